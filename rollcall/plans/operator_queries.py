@@ -1,0 +1,5 @@
+"""Operator-level queries: one inventory operator applied to the derived tables."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
