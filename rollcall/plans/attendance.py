@@ -6,16 +6,19 @@ Scale notes
   equi-joined on ``k_school_calendar``; the calendar side is one row per
   school day, so AQE broadcasts it when it is small and otherwise the
   sort-merge join has skew splitting for a calendar that holds many students.
-* After the fill, every window (dedupe, streaks, cumulatives) partitions by
-  (k_student, k_school) or a superset, so the plan needs one exchange for
-  all of them (checked with ``explain``).  No partition is larger than the
-  days of one student at one school.
+* The day's event is attached by a window, not a join: day rows and event
+  rows are unioned and shuffled ONCE on (k_student, k_school); the event
+  lookup, dedupe, streaks and cumulatives all partition by that key or a
+  superset, so they share the one exchange (checked with ``explain``).  No
+  window partition is larger than the days of one student at one school.
+* The fill session is resolved per calendar day (dimension-sized), so the
+  big table never shuffles on the school key alone.
 * Band labels are a generated CASE over the seed, not a nested-loop join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_count_in_range, within_end_date
@@ -99,27 +102,47 @@ def fct_student_daily_attendance(wh) -> DataFrame:
                .filter(F.col("is_school_day")
                        & (((F.col("calendar_date") <= today) & (F.col("calendar_date") <= F.col("max_date_by_school")))
                           | (F.col("max_calendar_date") <= today)))
-               .select("k_school_calendar", "k_calendar_date", "school_year", "calendar_date"))
+               .select("k_school_calendar", "k_school", "k_calendar_date", "school_year", "calendar_date"))
+
+    # fill session per calendar day: the covering session with the fewest
+    # instructional days (then lowest key) among sessions the school's events
+    # use.  Dimension-sized (calendar days x sessions of one school).
+    fill = wh("bld_attendance_sessions").select(
+        F.col("k_school").alias("__f_school"), F.col("k_session").alias("__f_session"),
+        "session_begin_date", "session_end_date", F.col("total_instructional_days").alias("__f_days"))
+    cal_fill = att_cal.join(
+        fill, (att_cal.k_school == fill.__f_school)
+        & att_cal.calendar_date.between(fill.session_begin_date, fill.session_end_date), "left")
+    cal_fill = deduplicate(cal_fill, ["k_calendar_date"], [F.col("__f_days").asc_nulls_last(),
+                                                          F.col("__f_session").asc_nulls_last()])
+    cal_fill = cal_fill.select("k_school_calendar", "k_calendar_date", "school_year", "calendar_date",
+                               "__f_session", "__f_days")
 
     enr = wh("fct_student_school_association").select(
         "k_student", "k_student_xyear", "k_school", "tenant_code", "entry_date", "exit_withdraw_date",
         "k_school_calendar")
-    days = (enr.join(att_cal, "k_school_calendar")
+    days = (enr.join(cal_fill, "k_school_calendar")
             .filter(F.col("calendar_date") >= F.col("entry_date")).drop("k_school_calendar"))
 
-    ev = att.select("k_student", "k_school", "k_calendar_date", F.col("k_session").alias("__ev_session"),
-                    "attendance_event_category", "attendance_event_reason", "is_absent",
-                    "attendance_excusal_status", "event_duration", "school_attendance_duration")
-    filled = days.join(ev, ["k_student", "k_school", "k_calendar_date"], "left")
+    # Attach the day's event with a window instead of a join: events are unique
+    # per (student, school, day), so after ONE exchange on (k_student, k_school)
+    # the event lookup, the dedupe, the streaks and the cumulatives all run in
+    # the same stage.
     ses = wh("dim_session").select(F.col("k_session").alias("__ev_session"),
                                    F.col("total_instructional_days").alias("__ev_days"))
-    filled = filled.join(ses, "__ev_session", "left")
-    fill = wh("bld_attendance_sessions").select(
-        F.col("k_school").alias("__f_school"), F.col("k_session").alias("__f_session"),
-        "session_begin_date", "session_end_date", F.col("total_instructional_days").alias("__f_days"))
-    filled = filled.join(
-        fill, F.col("__ev_session").isNull() & (filled.k_school == fill.__f_school)
-        & filled.calendar_date.between(fill.session_begin_date, fill.session_end_date), "left")
+    ev = (att.select("k_student", "k_school", "k_calendar_date", F.col("k_session").alias("__ev_session"),
+                     "attendance_event_category", "attendance_event_reason", "is_absent",
+                     "attendance_excusal_status", "event_duration", "school_attendance_duration")
+          .join(ses, "__ev_session", "left"))
+    ev_fields = ["__ev_days", "attendance_event_category", "__ev_session", "attendance_event_reason",
+                 "event_duration", "is_absent", "attendance_excusal_status", "school_attendance_duration"]
+    both = days.withColumn("__is_day", F.lit(True)).unionByName(
+        ev.withColumn("__is_day", F.lit(False)), allowMissingColumns=True)
+    both = both.repartition("k_student", "k_school")
+    w_day = Window.partitionBy("k_student", "k_school", "k_calendar_date")
+    picked = F.min(F.when(~F.col("__is_day"), F.struct(*ev_fields))).over(w_day)
+    filled = both.withColumn("__ev", picked).filter(F.col("__is_day"))
+    filled = filled.select(*[c for c in days.columns], *[F.col(f"__ev.{c}").alias(c) for c in ev_fields])
 
     enrolled = within_end_date("calendar_date", "exit_withdraw_date", cfg.exit_withdraw_date_inclusive)
     absent = F.col("is_absent")
@@ -142,8 +165,6 @@ def fct_student_daily_attendance(wh) -> DataFrame:
          .alias("attendance_excusal_status"),
         "event_duration", "school_attendance_duration",
     )
-    # one exchange on (k_student, k_school) serves the dedupe and every window below
-    rows = rows.repartition("k_student", "k_school")
     rows = deduplicate(rows, ["k_student", "k_school", "calendar_date"], [
         F.col("is_enrolled").desc_nulls_first(), F.col("total_instructional_days").asc_nulls_last(),
         F.col("attendance_event_category").asc_nulls_last(), F.col("k_session").asc_nulls_last(),

@@ -24,40 +24,99 @@ class Dataset:
     grain: tuple[str, ...]
     domain: str
     kind: str  # build | dim | fct | brg | msr | qc
+    materialized: str  # table | ephemeral
 
 
 DATASETS: dict[str, Dataset] = {}
 
 
-def dataset(name: str, grain: tuple[str, ...] = (), domain: str = "core"):
+def dataset(name: str, grain: tuple[str, ...] = (), domain: str = "core", materialized: str | None = None):
+    """Register a dataset.  Builds (``bld_*``) are ephemeral unless told
+    otherwise: inlined into the one dataset that reads them."""
     kind = name.split("_", 1)[0] if name.split("_", 1)[0] in ("dim", "fct", "brg", "msr") else "build"
+    materialized = materialized or ("ephemeral" if kind == "build" else "table")
 
     def deco(fn):
-        DATASETS[name] = Dataset(name, fn, tuple(grain), domain, kind)
+        DATASETS[name] = Dataset(name, fn, tuple(grain), domain, kind, materialized)
         return fn
     return deco
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sources: Callable[[str], DataFrame], config: Config):
+    """Resolves dataset names to DataFrames.
+
+    With ``materialize=True`` (the default) every dataset that another dataset
+    reads is written once as a parquet table under the shared table root and
+    read back, exactly like the reference's table materializations: plans stay
+    one model deep, lineage is cut at each table, and a shared dimension is
+    computed once instead of once per reference in the plan tree.  The
+    dataset asked for at the top level stays a lazy DataFrame.
+    """
+
+    def __init__(self, spark: SparkSession, sources: Callable[[str], DataFrame], config: Config,
+                 materialize: bool = True, table_root: str | None = None):
         self.spark = spark
         self.sources = sources
         self.config = config
+        self.materialize = materialize
+        self._root = table_root
         self._memo: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
+        self._depth = 0
+        self._force_name = None
+
+    @property
+    def root(self) -> str:
+        if self._root is None:
+            from ..sources.sinks import table_root
+            self._root = table_root(self.spark)
+        return self._root
 
     def __call__(self, name: str) -> DataFrame:
-        if name in self._memo:
-            return self._memo[name]
-        if name in DATASETS:
-            df = DATASETS[name].fn(self)
-        else:
-            df = self.sources(name)
-        self._memo[name] = df
+        if name in self._tables:
+            return self._tables[name]
+        if name not in self._memo:
+            if name in DATASETS:
+                self._depth += 1
+                try:
+                    self._memo[name] = DATASETS[name].fn(self)
+                finally:
+                    self._depth -= 1
+            else:
+                self._memo[name] = self.sources(name)
+        df = self._memo[name]
+        if (self.materialize and self._depth > 0 and name in DATASETS
+                and (DATASETS[name].materialized == "table" or name == self._force_name)):
+            from ..sources.sinks import materialize
+            df = materialize(df, f"{self.root}/{name}")
+            self._tables[name] = df
         return df
 
+    def table(self, name: str) -> DataFrame:
+        """Full-refresh one dataset: write it (and any missing dependency) as a table."""
+        if name in self._tables:
+            return self._tables[name]
+        self._depth += 1
+        self._force_name = name
+        try:
+            return self(name)
+        finally:
+            self._depth -= 1
+            self._force_name = None
+
+    def build(self, names) -> dict[str, float]:
+        """Full refresh of ``names`` in the given (dependency) order; seconds per dataset."""
+        import time
+        out = {}
+        for n in names:
+            t = time.perf_counter()
+            self.table(n)
+            out[n] = round(time.perf_counter() - t, 3)
+        return out
+
     def override(self, name: str, df: DataFrame) -> None:
         """Replace a dataset by an already materialized table."""
-        self._memo[name] = df
+        self._tables[name] = df
 
 
 def load_all() -> dict[str, Dataset]:
