@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from . import core  # noqa: F401  (registers CTEs)
+from . import core, domains  # noqa: F401  (registers CTEs)
 from .base import assemble
 
 ORACLE: dict[str, str] = {}

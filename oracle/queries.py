@@ -25,3 +25,17 @@ final("ds_fct_student_daily_attendance", "o_fct_daily",
 final("ds_msr_student_cumulative_attendance", "o_msr_cum",
       bigint=("school_year", "absentee_category_rank"),
       double=("days_absent", "days_attended", "days_enrolled", "attendance_rate"))
+final("ds_dim_subgroup", "o_dim_subgroup")
+final("ds_fct_student_subgroup", "o_fct_student_subgroup", bigint=("school_year",))
+final("ds_dim_program", "o_dim_program")
+final("ds_fct_student_program_association", "o_fct_program_assoc", bigint=("school_year",))
+final("ds_student_programs", "o_student_programs")
+final("ds_student_program__homeless", "o_program_homeless")
+final("ds_student_program__title_i_part_a", "o_program_title_i")
+final("ds_student_program__program_services", "o_program_services", lists=("program_services",))
+final("ds_fct_student_program_service", "o_fct_program_service")
+final("ds_dim_local_account", "o_dim_local_account", bigint=("fiscal_year",))
+final("ds_fct_local_actual_snapshots", "o_fct_actuals", bigint=("fiscal_year",))
+final("q1_students_by_subgroup", "o_q1", bigint=("school_year",))
+final("q2_attendance_rate_by_subgroup", "o_q2", bigint=("school_year",),
+      double=("total_days_attended", "total_days_enrolled", "attendance_rate"))

@@ -47,3 +47,20 @@ def row_pluck(df: DataFrame, key: Sequence | str, column: str, preferred: str,
         df = df.filter(where)
     df = df.withColumn("is_preferred", F.col(column) == F.lit(preferred))
     return deduplicate(df, key, [F.col("is_preferred").desc_nulls_last(), F.col(column).asc_nulls_last()])
+
+
+def flag_first_by_key(df: DataFrame, name: str, partition_by: Sequence[str], sort_key: Column,
+                      tie_break: str) -> DataFrame:
+    """W3 for coarse, possibly hot keys: True on the row with the smallest
+    ``(sort_key, tie_break)`` per partition.
+
+    Instead of a window (one task would sort a whole hot key), the winner is
+    found by an aggregate over a struct of the sort keys, which combines
+    map-side, and joined back on the key (AQE splits a skewed side of that
+    join).  ``sort_key`` must sort ascending in the wanted order (negate dates
+    or numbers for descending).
+    """
+    win = (df.groupBy(*partition_by)
+           .agg(F.min(F.struct(sort_key.alias("s"), F.col(tie_break).alias("t")))["t"].alias("__rc_winner")))
+    out = df.join(win, list(partition_by), "left")
+    return out.withColumn(name, F.coalesce(F.col(tie_break) == F.col("__rc_winner"), F.lit(False))).drop("__rc_winner")

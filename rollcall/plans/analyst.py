@@ -1,5 +1,46 @@
-"""Documented analyst queries over the finished star (Q1-Q10)."""
+"""Documented analyst queries over the finished star (Q1-Q10).
+
+Inputs are read as tables (``wh.table``), the way an analyst queries the
+materialized warehouse.  All run over every school, year and subgroup.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.metrics import rate_pct
+
+
+def q1_students_by_subgroup(wh) -> DataFrame:
+    """Q1: distinct students by school, year and subgroup."""
+    e = wh.table("fct_student_school_association").select("k_student", "k_school", "school_year")
+    s = wh.table("fct_student_subgroup").select("k_student", "k_subgroup")
+    d = wh.table("dim_school").select("k_school", "school_id", "school_name")
+    g = wh.table("dim_subgroup").select("k_subgroup", "subgroup_category", "subgroup_value")
+    return (e.join(s, "k_student").join(d, "k_school").join(g, "k_subgroup")
+            .groupBy("k_school", "school_id", "school_name", "school_year", "k_subgroup", "subgroup_category",
+                     "subgroup_value")
+            .agg(F.countDistinct("k_student").alias("total_unique_students")))
+
+
+def q2_attendance_rate_by_subgroup(wh) -> DataFrame:
+    """Q2: attendance rate by school, year and subgroup (ratio of sums, A18)."""
+    a = wh.table("msr_student_cumulative_attendance").select("k_student", "k_school", "school_year",
+                                                             "days_attended", "days_enrolled")
+    s = wh.table("fct_student_subgroup").select("k_student", "k_subgroup")
+    d = wh.table("dim_school").select("k_school", "school_id", "school_name")
+    g = wh.table("dim_subgroup").select("k_subgroup", "subgroup_category", "subgroup_value")
+    out = (a.join(s, "k_student").join(d, "k_school").join(g, "k_subgroup")
+           .groupBy("k_school", "school_id", "school_name", "school_year", "k_subgroup", "subgroup_category",
+                    "subgroup_value")
+           .agg(F.sum("days_attended").alias("total_days_attended"),
+                F.sum("days_enrolled").alias("total_days_enrolled"),
+                F.countDistinct("k_student").alias("total_unique_students")))
+    return out.withColumn("attendance_rate", rate_pct("total_days_attended", "total_days_enrolled"))
+
+
+QUERIES = {
+    "q1_students_by_subgroup": q1_students_by_subgroup,
+    "q2_attendance_rate_by_subgroup": q2_attendance_rate_by_subgroup,
+}

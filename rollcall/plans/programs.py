@@ -1,3 +1,128 @@
-"""programs datasets."""
+"""Student programs: associations, services and per-student program flags."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..config import ProgramSpec
+from ..functions.columns import not_in
+from ..operators.joins import seed
+from ..operators.sets import sorted_array
+from .registry import dataset
+
+
+@dataset("dim_program", grain=("k_program",))
+def dim_program(wh) -> DataFrame:
+    """P1 projection of programs (one row per program key)."""
+    p = wh("stg_ef3__programs")
+    return p.groupBy("k_program").agg(
+        F.min("tenant_code").alias("tenant_code"), F.min("program_id").alias("program_id"),
+        F.min("program_name").alias("program_name"), F.min("program_type").alias("program_type"))
+
+
+@dataset("fct_student_program_association", grain=("k_student_program",))
+def fct_student_program_association(wh) -> DataFrame:
+    """Stage joined to known students and programs."""
+    a = wh("stg_ef3__student_program_associations")
+    stu = wh("dim_student").select("k_student")
+    prg = wh("dim_program").select("k_program")
+    return a.join(stu, "k_student").join(prg, "k_program").select(
+        "k_student_program", "k_student", "k_student_xyear", "k_program", "k_school", "tenant_code", "school_year",
+        "program_enroll_begin_date", "program_enroll_end_date", "participation_status",
+        "is_served_outside_regular_session")
+
+
+@dataset("bld_student_programs", grain=("k_student",))
+def student_programs(wh) -> DataFrame:
+    """Active / annual / ever flag per crosswalk indicator.
+
+    The indicator list comes from the crosswalk (a seed, collected once while
+    the plan is built); every flag is a conditional ``max`` in one aggregate.
+    "ever" is the max of "annual" over the student's years (second aggregate
+    on the cross-year key, joined back).
+    """
+    today = wh.config.today()
+    xw = seed(wh("xwalk_student_programs"))
+    types = [tuple(r) for r in xw.select("indicator_name", "is_active", "is_annual", "is_ever").distinct()
+             .orderBy("indicator_name").limit(1000).collect()]
+    st = wh("stg_ef3__student_program_associations").join(xw, "program_name")
+    active = (F.col("program_enroll_begin_date") <= today) & (
+        F.col("program_enroll_end_date").isNull() | (F.col("program_enroll_end_date") > today))
+    aggs = [F.min("tenant_code").alias("tenant_code"), F.min("ed_org_id").alias("ed_org_id")]
+    for name, *_ in types:
+        hit = F.col("indicator_name") == F.lit(name)
+        aggs += [F.max(hit & active).alias(f"is_{name}_active"), F.max(hit).alias(f"is_{name}_annual")]
+    maxed = st.groupBy("k_student", "k_student_xyear").agg(*aggs)
+    ever = maxed.groupBy("k_student_xyear").agg(
+        *[F.max(f"is_{n}_annual").alias(f"is_{n}_ever") for n, *_ in types])
+    j = maxed.join(ever, "k_student_xyear", "left")
+    cols = ["k_student", "k_student_xyear", "tenant_code"]
+    for name, is_active, is_annual, is_ever in types:
+        cols += ([f"is_{name}_active"] if is_active else []) + ([f"is_{name}_annual"] if is_annual else []) \
+            + ([f"is_{name}_ever"] if is_ever else [])
+    return j.select(*cols, "ed_org_id")
+
+
+# One builder serves the seven program domains; the derived data carries one
+# program stage, split by program name for two of them.
+PROGRAMS = {
+    "homeless": ProgramSpec(name="homeless", source="stg_ef3__student_program_associations",
+                            excluded_program_names=("3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"),
+                            attribute_columns=("is_served_outside_regular_session", "participation_status")),
+    "title_i_part_a": ProgramSpec(name="title_i_part_a", source="stg_ef3__student_program_associations",
+                                  excluded_program_names=("1-URGENT",),
+                                  custom_aggregates=(("n_title_i_enrollments", "count(*)"),)),
+}
+
+
+def program_flags(wh, spec: ProgramSpec) -> DataFrame:
+    """``is_{name}_active`` / ``_annual`` / ``_ever`` plus
+    attribute maxes and configured aggregates, one row per student-year."""
+    today = wh.config.today()
+    st = wh(spec.source)
+    keep = not_in("program_name", spec.excluded_program_names)
+    begin, end = F.col(spec.begin_column), F.col(spec.exit_column)
+    active = keep & (begin <= today) & (end.isNull() | (end > today))
+    aggs = [F.min("tenant_code").alias("tenant_code"),
+            F.max(active).alias(f"is_{spec.name}_active"),
+            F.max(keep).alias(f"is_{spec.name}_annual")]
+    aggs += [F.expr(sql).alias(name) for name, sql in spec.custom_aggregates]
+    aggs += [F.max(c).alias(c) for c in spec.attribute_columns]
+    maxed = st.groupBy("k_student", "k_student_xyear").agg(*aggs)
+    ever = maxed.groupBy("k_student_xyear").agg(F.max(f"is_{spec.name}_annual").alias(f"is_{spec.name}_ever"))
+    return maxed.join(ever, "k_student_xyear", "left")
+
+
+@dataset("bld_student_program__homeless", grain=("k_student",))
+def student_program_homeless(wh) -> DataFrame:
+    return program_flags(wh, PROGRAMS["homeless"])
+
+
+@dataset("bld_student_program__title_i_part_a", grain=("k_student",))
+def student_program_title_i(wh) -> DataFrame:
+    return program_flags(wh, PROGRAMS["title_i_part_a"])
+
+
+@dataset("bld_student_program__program_services", grain=("k_student_program",))
+def program_services(wh) -> DataFrame:
+    """Sorted service list per program enrollment."""
+    s = wh("stg_ef3__program_services")
+    return s.groupBy("tenant_code", "k_student_program", "k_student", "k_student_xyear", "k_program",
+                     "k_school", "program_enroll_begin_date").agg(
+        sorted_array("program_service").alias("program_services"))
+
+
+@dataset("fct_student_program_service", grain=("k_student_program", "program_service"))
+def fct_student_program_service(wh) -> DataFrame:
+    """Service rows of all program stages (unioned by name, missing
+    columns NULL, source tagged) joined to known programs."""
+    from ..operators.sets import union_all
+    s = wh("stg_ef3__program_services")
+    stages = [s.filter(F.col("primary_indicator")),
+              s.filter(~F.col("primary_indicator")).drop("service_end_date")]
+    u = union_all(stages, allow_missing=True, source_col="program_source", names=["primary", "secondary"])
+    return u.join(wh("dim_program").select("k_program"), "k_program").select(
+        "k_student_program", "k_student", "k_student_xyear", "k_program", "k_school", "tenant_code",
+        "program_enroll_begin_date", "program_service", "primary_indicator", "service_begin_date",
+        "service_end_date", "program_source")

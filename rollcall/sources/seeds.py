@@ -54,9 +54,16 @@ LETTER_GRADES = [
 
 # fixed values: subgroup category display names
 SUBGROUP_CATEGORY_NAMES = [
-    ("market_segment", "Market Segment"),
-    ("nation", "Nation"),
-    ("balance_sign", "Balance Sign"),
+    ("gender", "Gender"),
+    ("race_ethnicity", "Race and Ethnicity"),
+    ("grade_level", "Grade Level"),
+]
+
+# fixed values: subgroup value display names
+SUBGROUP_VALUE_NAMES = [
+    ("gender", "Female", "Female students"),
+    ("gender", "Male", "Male students"),
+    ("is_gifted", "true", "Gifted"),
 ]
 
 # fixed values: student program names -> indicator and which flags to emit
@@ -87,6 +94,7 @@ _SCHEMAS = {
     "xwalk_grade_levels": "grade_level string, grade_level_integer int",
     "xwalk_letter_grades": "letter_grade string, unweighted_gpa_points decimal(3,2), exclude_from_gpa boolean, is_dorf boolean, grade_sort_index int",
     "xwalk_subgroup_category_display_names": "subgroup_category string, subgroup_category_display_name string",
+    "xwalk_subgroup_value_display_names": "subgroup_category string, subgroup_value string, subgroup_value_display_name string",
     "xwalk_student_programs": "program_name string, indicator_name string, is_active boolean, is_annual boolean, is_ever boolean",
     "xwalk_discipline_behaviors": "behavior_type string, severity_order int",
     "xwalk_student_characteristics": "characteristic_descriptor string, indicator_name string",
@@ -99,6 +107,7 @@ _ROWS = {
     "xwalk_grade_levels": GRADE_LEVELS,
     "xwalk_letter_grades": LETTER_GRADES,
     "xwalk_subgroup_category_display_names": SUBGROUP_CATEGORY_NAMES,
+    "xwalk_subgroup_value_display_names": SUBGROUP_VALUE_NAMES,
     "xwalk_student_programs": STUDENT_PROGRAMS,
     "xwalk_discipline_behaviors": DISCIPLINE_BEHAVIORS,
     "xwalk_student_characteristics": STUDENT_CHARACTERISTICS,

@@ -315,3 +315,84 @@ class Staging:
             F.lit(None).cast("string").alias("departure_time"),
             F.lit("Classroom").alias("educational_environment"),
         )
+
+    # ---- programs (orders) ------------------------------------------------
+    def _orders_home(self) -> DataFrame:
+        o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                                    "o_orderpriority")
+        o = o.withColumn("home_school_id", _mod("o_custkey", N_HOME_SCHOOLS)).join(self("home_school"), "home_school_id")
+        return (o.withColumn("begin_date", F.to_date("o_orderdate"))
+                .withColumn("school_year", F.when(F.year("o_orderdate") >= 1998, F.lit(SCHOOL_YEAR))
+                            .otherwise(F.lit(PRIOR_YEAR))))
+
+    def _stg_ef3__programs(self) -> DataFrame:
+        o = self("orders_home").select("tenant_code", "home_school_id", "o_orderpriority").distinct()
+        return o.select(
+            "tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+            key("tenant_code", "o_orderpriority").alias("k_program"),
+            key("tenant_code", "home_school_id").alias("k_school"),
+            F.col("o_orderpriority").alias("program_name"),
+            F.col("o_orderpriority").alias("program_id"),
+            F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Intervention").otherwise("Enrichment")
+             .alias("program_type"),
+            F.col("home_school_id").cast("string").alias("ed_org_id"),
+        )
+
+    def _stg_ef3__student_program_associations(self) -> DataFrame:
+        o = self("orders_home")
+        end = F.when(F.col("o_orderstatus") == "F", F.date_add("begin_date", 90))
+        return o.select(
+            "tenant_code", "school_year",
+            key("tenant_code", "o_custkey", "school_year").alias("k_student"),
+            key("tenant_code", "o_custkey").alias("k_student_xyear"),
+            key("tenant_code", "o_orderpriority").alias("k_program"),
+            key("tenant_code", "o_custkey", "o_orderkey").alias("k_student_program"),
+            key("tenant_code", "home_school_id").alias("k_school"),
+            F.col("home_school_id").cast("string").alias("ed_org_id"),
+            F.col("o_orderpriority").alias("program_name"),
+            F.col("begin_date").alias("program_enroll_begin_date"),
+            end.alias("program_enroll_end_date"),
+            F.col("o_orderstatus").alias("participation_status"),
+            (_mod("o_orderkey", 3) == 0).alias("is_served_outside_regular_session"),
+        )
+
+    def _stg_ef3__program_services(self) -> DataFrame:
+        """Services per program enrollment: one or two per order (by key)."""
+        a = self("stg_ef3__student_program_associations")
+        o = self("orders_home").select(key("tenant_code", "o_custkey", "o_orderkey").alias("k_student_program"),
+                                       "o_orderkey", "o_totalprice")
+        svc = F.when(_mod("o_orderkey", 2) == 0, F.array(F.lit("Counseling"), F.lit("Tutoring"))).otherwise(
+            F.array(F.lit("Tutoring")))
+        j = a.join(o, "k_student_program").select("*", F.explode(svc).alias("program_service"))
+        return j.select("tenant_code", "k_student_program", "k_student", "k_student_xyear", "k_program", "k_school",
+                        "program_enroll_begin_date", "program_service",
+                        (F.col("program_service") == "Tutoring").alias("primary_indicator"),
+                        F.col("program_enroll_begin_date").alias("service_begin_date"),
+                        F.col("program_enroll_end_date").alias("service_end_date"))
+
+    # ---- finance (orders) ---------------------------------------------------
+    def _stg_ef3__local_accounts(self) -> DataFrame:
+        o = self("orders_home").select("tenant_code", "o_custkey", "home_school_id").distinct()
+        return o.select(
+            "tenant_code", F.lit(SCHOOL_YEAR).alias("fiscal_year"),
+            key("tenant_code", "o_custkey").alias("k_local_account"),
+            key("tenant_code", "home_school_id").alias("k_school"),
+            F.col("o_custkey").cast("string").alias("local_account_identifier"),
+            F.concat(F.lit("Account "), F.col("o_custkey").cast("string")).alias("local_account_name"),
+            F.col("home_school_id").cast("string").alias("ed_org_id"),
+            F.lit("School").alias("ed_org_type"),
+        )
+
+    def _stg_ef3__local_actuals(self) -> DataFrame:
+        o = self("orders_home")
+        return o.select(
+            "tenant_code",
+            key("tenant_code", "o_orderkey").alias("k_local_actual_snapshot"),
+            key("tenant_code", "o_custkey").alias("k_local_account"),
+            F.col("o_totalprice").alias("amount"),
+            F.col("begin_date").alias("as_of_date"),
+            F.col("home_school_id").cast("string").alias("ed_org_id"),
+            F.col("o_orderpriority").alias("financial_collection"),
+            F.year("begin_date").alias("fiscal_year"),
+            F.col("o_custkey").cast("string").alias("local_account_identifier"),
+        )
