@@ -101,7 +101,7 @@ def minutes_between(start, end) -> Column:
     s = F.to_timestamp(F.concat(F.lit("1970-01-01 "), _c(start)))
     e = F.to_timestamp(F.concat(F.lit("1970-01-01 "), _c(end)))
     e = F.when(s > e, e + F.expr("INTERVAL 12 HOURS")).otherwise(e)
-    return F.timestampdiff("MINUTE", s, e)
+    return F.timestamp_diff("MINUTE", s, e)
 
 
 def race_label(is_hispanic, races, hispanic_code: str, multiple_code: str, unknown_code: str) -> Column:
