@@ -15,9 +15,47 @@ FROM stg_leas l
 WHERE EXISTS (SELECT 1 FROM o_tenant_lea_ownership o WHERE o.tenant_code = l.tenant_code AND o.k_lea = l.k_lea)""",
     "stg_leas", "o_tenant_lea_ownership")
 
+cte("stg_school_addresses", """
+SELECT s.tenant_code, s.k_school, t.address_type,
+       t.address_type || ' Rd ' || CAST(s.school_id AS VARCHAR) AS street_address,
+       'City ' || CAST(s.school_id % 50 AS VARCHAR) AS city,
+       lpad(CAST(s.school_id % 100000 AS VARCHAR), 5, '0') AS postal_code
+FROM stg_schools s
+JOIN (VALUES ('Physical'), ('Mailing'), ('Home')) t(address_type)
+  ON (t.address_type = 'Physical' AND s.school_id % 3 <> 0) OR t.address_type = 'Mailing'
+  OR (t.address_type = 'Home' AND s.school_id % 2 = 0)""", "stg_schools")
+
+cte("o_school_address", """
+SELECT k_school, address_type, street_address, city, postal_code FROM stg_school_addresses
+QUALIFY row_number() OVER (PARTITION BY k_school
+                           ORDER BY (address_type = 'Physical') DESC NULLS LAST, address_type ASC NULLS LAST) = 1""",
+    "stg_school_addresses")
+
+cte("stg_school_ids", """
+SELECT s.tenant_code, s.k_school, t.id_system, left(t.id_system, 1) || CAST(s.school_id AS VARCHAR) AS id_code
+FROM stg_schools s
+JOIN (VALUES ('NCES'), ('State'), ('Local'), ('Federal')) t(id_system)
+  ON t.id_system IN ('NCES', 'State') OR (t.id_system = 'Local' AND s.school_id % 2 = 0)
+  OR (t.id_system = 'Federal' AND s.school_id % 7 = 0)""", "stg_schools")
+
+cte("o_wide_ids_school", """
+SELECT i.tenant_code, i.k_school,
+       min(CASE WHEN x.id_name = 'local' THEN i.id_code END) AS local_school_code,
+       min(CASE WHEN x.id_name = 'nces' THEN i.id_code END) AS nces_school_code,
+       min(CASE WHEN x.id_name = 'state' THEN i.id_code END) AS state_school_code
+FROM stg_school_ids i
+JOIN (VALUES ('NCES', 'nces'), ('State', 'state'), ('Local', 'local')) x(id_system, id_name)
+  ON i.id_system = x.id_system
+GROUP BY i.tenant_code, i.k_school""", "stg_school_ids")
+
 cte("o_dim_school", """
-SELECT s.k_school, s.k_lea, s.tenant_code, s.school_id, s.school_name, s.school_category, l.lea_name
-FROM stg_schools s JOIN o_dim_lea l ON s.k_lea = l.k_lea""", "stg_schools", "o_dim_lea")
+SELECT s.k_school, s.k_lea, s.tenant_code, s.school_id, s.school_name, s.school_category, l.lea_name,
+       a.address_type, a.street_address, a.city, a.postal_code,
+       w.local_school_code, w.nces_school_code, w.state_school_code
+FROM stg_schools s JOIN o_dim_lea l ON s.k_lea = l.k_lea
+LEFT JOIN o_school_address a ON s.k_school = a.k_school
+LEFT JOIN o_wide_ids_school w ON s.k_school = w.k_school""",
+    "stg_schools", "o_dim_lea", "o_school_address", "o_wide_ids_school")
 
 cte("o_dim_school_calendar", """
 SELECT c.k_school_calendar, c.k_school, c.tenant_code, c.school_year, c.calendar_code, c.calendar_type,

@@ -189,3 +189,64 @@ JOIN o_fct_student_subgroup s ON a.k_student = s.k_student
 JOIN o_dim_school d ON a.k_school = d.k_school
 JOIN o_dim_subgroup g ON s.k_subgroup = g.k_subgroup
 GROUP BY 1, 2, 3, 4, 5, 6, 7) t""", "o_msr_cum", "o_fct_student_subgroup", "o_dim_school", "o_dim_subgroup")
+
+# ---------------------------------------------------------------- grades
+cte("xwalk_letter_grades", """
+SELECT l AS letter_grade, CAST(p AS DECIMAL(3,2)) AS unweighted_gpa_points, x AS exclude_from_gpa, d AS is_dorf,
+       CAST(i AS INTEGER) AS grade_sort_index
+FROM (VALUES ('a', 4.00, false, false, 1), ('n', 1.00, false, true, 2)) t(l, p, x, d, i)""")
+
+cte("part_home", """
+SELECT p.p_partkey, p.p_name, p.p_brand, p.p_type, p.p_size, p.p_partkey % 10 AS home_school_id, h.tenant_code
+FROM part p JOIN home_school h ON p.p_partkey % 10 = h.home_school_id""", "home_school")
+
+cte("o_dim_course", f"""
+SELECT {K('p.tenant_code', 'p.p_partkey')} AS k_course, {K('p.tenant_code', 'p.home_school_id')} AS k_school,
+       p.tenant_code, 2024 AS school_year, CAST(p.p_partkey AS VARCHAR) AS course_code, p.p_name AS course_title,
+       upper(left(p.p_type, 1)) || lower(substr(p.p_type, 2)) AS academic_subject
+FROM part_home p
+WHERE {K('p.tenant_code', 'p.home_school_id')} IN (SELECT k_school FROM o_dim_school)""", "part_home", "o_dim_school")
+
+cte("o_dim_course_section", f"""
+SELECT {K('p.tenant_code', 'p.p_partkey', "'S1'")} AS k_course_section, c.k_course, c.k_school,
+       {K('p.tenant_code', 'p.home_school_id', '2024', "'Year Round'")} AS k_session, p.tenant_code,
+       2024 AS school_year, CAST(p.p_partkey AS VARCHAR) || '-S1' AS section_id, p.p_brand AS section_name,
+       p.p_size AS available_credits, c.course_code, c.course_title, c.academic_subject, ds.session_name
+FROM part_home p
+JOIN o_dim_course c ON {K('p.tenant_code', 'p.p_partkey')} = c.k_course
+LEFT JOIN o_dim_session ds ON {K('p.tenant_code', 'p.home_school_id', '2024', "'Year Round'")} = ds.k_session""",
+    "part_home", "o_dim_course", "o_dim_session")
+
+cte("o_dim_grading_period", f"""
+SELECT {K('s.tenant_code', 's.school_id', '2024', 'g.n')} AS k_grading_period, s.k_school, s.tenant_code,
+       2024 AS school_year, g.n AS grading_period, g.b AS begin_date, g.e AS end_date, g.q AS period_sequence
+FROM stg_schools s
+CROSS JOIN (VALUES ('Third Quarter', DATE '2024-01-01', DATE '2024-01-15', 3),
+                   ('Fourth Quarter', DATE '2024-01-16', DATE '2024-01-31', 4)) g(n, b, e, q)
+WHERE s.k_school IN (SELECT k_school FROM o_dim_school)""", "stg_schools", "o_dim_school")
+
+cte("stg_grades", f"""
+SELECT hs.tenant_code, 2024 AS school_year, {K('hs.tenant_code', 'o.o_custkey', '2024')} AS k_student,
+       {K('hs.tenant_code', 'o.o_custkey % 10')} AS k_school,
+       {K('hp.tenant_code', 'l.l_partkey', "'S1'")} AS k_course_section,
+       {K('hs.tenant_code', 'o.o_custkey % 10', '2024',
+          "CASE WHEN l.l_linenumber % 2 = 0 THEN 'Third Quarter' ELSE 'Fourth Quarter' END")} AS k_grading_period,
+       CASE WHEN l.l_linestatus = 'F' THEN 'Final' ELSE 'Grading Period' END AS grade_type,
+       l.l_returnflag AS letter_grade_earned, l.l_quantity AS numeric_grade_earned
+FROM lineitem l
+JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN home_school hs ON o.o_custkey % 10 = hs.home_school_id
+JOIN home_school hp ON l.l_partkey % 10 = hp.home_school_id""", "home_school")
+
+cte("o_fct_grades", """
+SELECT g.k_student, g.k_course_section, g.k_school, g.k_grading_period, g.grade_type, g.tenant_code, g.school_year,
+       g.letter_grade_earned, g.numeric_grade_earned, x.unweighted_gpa_points, x.exclude_from_gpa, x.is_dorf,
+       x.grade_sort_index
+FROM stg_grades g
+JOIN o_dim_student s ON g.k_student = s.k_student
+JOIN o_dim_school d ON g.k_school = d.k_school
+JOIN o_dim_grading_period p ON g.k_grading_period = p.k_grading_period
+JOIN o_dim_course_section c ON g.k_course_section = c.k_course_section
+LEFT JOIN xwalk_letter_grades x ON lower(g.letter_grade_earned) = x.letter_grade""",
+    "stg_grades", "o_dim_student", "o_dim_school", "o_dim_grading_period", "o_dim_course_section",
+    "xwalk_letter_grades")

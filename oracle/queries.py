@@ -39,3 +39,10 @@ final("ds_fct_local_actual_snapshots", "o_fct_actuals", bigint=("fiscal_year",))
 final("q1_students_by_subgroup", "o_q1", bigint=("school_year",))
 final("q2_attendance_rate_by_subgroup", "o_q2", bigint=("school_year",),
       double=("total_days_attended", "total_days_enrolled", "attendance_rate"))
+final("ds_school_address", "o_school_address")
+final("ds_wide_ids_school", "o_wide_ids_school")
+final("ds_dim_course", "o_dim_course", bigint=("school_year",))
+final("ds_dim_course_section", "o_dim_course_section", bigint=("school_year", "available_credits"))
+final("ds_dim_grading_period", "o_dim_grading_period", bigint=("school_year", "period_sequence"))
+final("ds_fct_student_grades", "o_fct_grades", bigint=("school_year", "grade_sort_index"),
+      double=("unweighted_gpa_points",))

@@ -1,3 +1,58 @@
-"""grades datasets."""
+"""Courses, sections, grading periods and grades."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators.joins import seed
+from .registry import dataset
+
+
+@dataset("dim_course", grain=("k_course",))
+def dim_course(wh) -> DataFrame:
+    """Courses at known schools."""
+    c = wh("stg_ef3__courses")
+    return c.join(wh("dim_school").select("k_school"), "k_school").select(
+        "k_course", "k_school", "tenant_code", "school_year", "course_code", "course_title", "academic_subject")
+
+
+@dataset("dim_course_section", grain=("k_course_section",))
+def dim_course_section(wh) -> DataFrame:
+    """Section joined to its course (J1) and session."""
+    s = wh("stg_ef3__sections")
+    c = wh("dim_course").select("k_course", "course_code", "course_title", "academic_subject")
+    ses = wh("dim_session").select("k_session", "session_name")
+    return s.join(c, "k_course").join(ses, "k_session", "left").select(
+        "k_course_section", "k_course", "k_school", "k_session", "tenant_code", "school_year", "section_id",
+        "section_name", "available_credits", "course_code", "course_title", "academic_subject", "session_name")
+
+
+@dataset("dim_grading_period", grain=("k_grading_period",))
+def dim_grading_period(wh) -> DataFrame:
+    """Grading periods at known schools."""
+    g = wh("stg_ef3__grading_periods")
+    return g.join(wh("dim_school").select("k_school"), "k_school").select(
+        "k_grading_period", "k_school", "tenant_code", "school_year", "grading_period", "begin_date", "end_date",
+        "period_sequence")
+
+
+@dataset("fct_student_grades", grain=("k_student", "k_course_section", "k_grading_period", "grade_type"))
+def fct_student_grades(wh) -> DataFrame:
+    """Grades of known students, schools, periods and sections (J1), with the
+    letter-grade lookup matched case-insensitively (J14).
+
+    The big input (line items x orders) joins the dimensions by key; the
+    dimensions are small enough for AQE to broadcast at run time.
+    """
+    g = wh("stg_ef3__grades")
+    stu = wh("dim_student").select("k_student")
+    sch = wh("dim_school").select("k_school")
+    gp = wh("dim_grading_period").select("k_grading_period")
+    sec = wh("dim_course_section").select("k_course_section")
+    xw = seed(wh("xwalk_letter_grades"))
+    j = g.join(stu, "k_student").join(sch, "k_school").join(gp, "k_grading_period").join(sec, "k_course_section")
+    j = j.join(xw, F.lower(j.letter_grade_earned) == xw.letter_grade, "left")
+    return j.select("k_student", "k_course_section", "k_school", "k_grading_period", "grade_type", "tenant_code",
+                    "school_year", "letter_grade_earned", "numeric_grade_earned", "unweighted_gpa_points",
+                    "exclude_from_gpa", "is_dorf", "grade_sort_index")

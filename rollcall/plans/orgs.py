@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.dedupe import row_pluck
+from ..operators.joins import seed
+from ..operators.reshape import crosswalk_values, pivot_values
 from .registry import dataset
 
 
@@ -25,10 +28,34 @@ def dim_lea(wh) -> DataFrame:
         "k_lea", "tenant_code", "lea_id", "lea_name", "lea_category")
 
 
+@dataset("bld_school_address", grain=("k_school",))
+def school_address(wh) -> DataFrame:
+    """R2: the school's Physical address if it has one, else the first type alphabetically."""
+    a = wh("stg_ef3__schools__addresses")
+    return row_pluck(a, "k_school", "address_type", "Physical").select(
+        "k_school", "address_type", "street_address", "city", "postal_code")
+
+
+@dataset("bld_wide_ids_school", grain=("tenant_code", "k_school"))
+def wide_ids_school(wh) -> DataFrame:
+    """X1 + S11: identification codes pivoted to ``{id_name}_school_code``; the
+    column list comes from the crosswalk, codes without a crosswalk entry drop."""
+    xw = seed(wh("xwalk_id_types_ed_org"))
+    ids = wh("stg_ef3__schools__identification_codes").join(xw, "id_system")
+    names = crosswalk_values(xw, "id_name")
+    return pivot_values(ids, ["tenant_code", "k_school"], "id_name", names, "id_code", agg="min",
+                        suffix="_school_code")
+
+
 @dataset("dim_school", grain=("k_school",))
 def dim_school(wh) -> DataFrame:
-    """Schools of known districts (J1), with the district name."""
+    """Schools of known districts (J1), with the district name, preferred
+    address and wide id codes (J2)."""
     sch = wh("stg_ef3__schools")
     lea = wh("dim_lea").select("k_lea", "lea_name")
-    return sch.join(lea, "k_lea", "inner").select(
-        "k_school", "k_lea", "tenant_code", "school_id", "school_name", "school_category", "lea_name")
+    addr = wh("bld_school_address")
+    ids = wh("bld_wide_ids_school").drop("tenant_code")
+    id_cols = [c for c in ids.columns if c != "k_school"]
+    return (sch.join(lea, "k_lea", "inner").join(addr, "k_school", "left").join(ids, "k_school", "left")
+            .select("k_school", "k_lea", "tenant_code", "school_id", "school_name", "school_category", "lea_name",
+                    "address_type", "street_address", "city", "postal_code", *id_cols))

@@ -49,7 +49,14 @@ GRADE_LEVELS = [
 # fixed values: letter grades -> points, exclusion, D-or-F flag, sort index
 LETTER_GRADES = [
     ("a", D("4.00"), False, False, 1),
-    ("n", D("2.00"), False, True, 2),
+    ("n", D("1.00"), False, True, 2),
+]
+
+# fixed values: ed-org identification systems -> column name stem
+ID_TYPES_ED_ORG = [
+    ("NCES", "nces"),
+    ("State", "state"),
+    ("Local", "local"),
 ]
 
 # fixed values: subgroup category display names
@@ -93,6 +100,7 @@ _SCHEMAS = {
     "absentee_categories": "threshold_lower decimal(5,2), threshold_upper decimal(5,2), level_numeric int, level_label string",
     "xwalk_grade_levels": "grade_level string, grade_level_integer int",
     "xwalk_letter_grades": "letter_grade string, unweighted_gpa_points decimal(3,2), exclude_from_gpa boolean, is_dorf boolean, grade_sort_index int",
+    "xwalk_id_types_ed_org": "id_system string, id_name string",
     "xwalk_subgroup_category_display_names": "subgroup_category string, subgroup_category_display_name string",
     "xwalk_subgroup_value_display_names": "subgroup_category string, subgroup_value string, subgroup_value_display_name string",
     "xwalk_student_programs": "program_name string, indicator_name string, is_active boolean, is_annual boolean, is_ever boolean",
@@ -106,6 +114,7 @@ _ROWS = {
     "absentee_categories": ABSENTEE_CATEGORIES,
     "xwalk_grade_levels": GRADE_LEVELS,
     "xwalk_letter_grades": LETTER_GRADES,
+    "xwalk_id_types_ed_org": ID_TYPES_ED_ORG,
     "xwalk_subgroup_category_display_names": SUBGROUP_CATEGORY_NAMES,
     "xwalk_subgroup_value_display_names": SUBGROUP_VALUE_NAMES,
     "xwalk_student_programs": STUDENT_PROGRAMS,

@@ -53,6 +53,11 @@ SESSIONS = [
 # fixed values: grade level of a student by c_custkey % 7
 GRADE_BY_KEY = ["Kindergarten", "First grade", "Second grade", "Third grade",
                 "Fourth grade", "Fifth grade", "Sixth grade"]
+# fixed values: grading periods (name, begin, end)
+GRADING_PERIODS = [
+    ("Third Quarter", dt.date(2024, 1, 1), dt.date(2024, 1, 15)),
+    ("Fourth Quarter", dt.date(2024, 1, 16), dt.date(2024, 1, 31)),
+]
 # fixed values: races by c_custkey % 5 (index 4 = no race rows)
 RACES_BY_KEY = [["White"], ["Black - African American"], ["White", "Asian"], ["Asian"], []]
 
@@ -396,3 +401,81 @@ class Staging:
             F.year("begin_date").alias("fiscal_year"),
             F.col("o_custkey").cast("string").alias("local_account_identifier"),
         )
+
+    # ---- school addresses and identification codes (supplier) --------------
+    def _stg_ef3__schools__addresses(self) -> DataFrame:
+        sch = self("stg_ef3__schools").select("tenant_code", "k_school", "school_id", "school_name")
+        types = F.filter(F.array(F.when(_mod("school_id", 3) != 0, F.lit("Physical")), F.lit("Mailing"),
+                                 F.when(_mod("school_id", 2) == 0, F.lit("Home"))), lambda x: x.isNotNull())
+        a = sch.select("*", F.explode(types).alias("address_type"))
+        return a.select("tenant_code", "k_school", "address_type",
+                        F.concat(F.col("address_type"), F.lit(" Rd "), F.col("school_id").cast("string"))
+                        .alias("street_address"),
+                        F.concat(F.lit("City "), _mod("school_id", 50).cast("string")).alias("city"),
+                        F.lpad(_mod("school_id", 100000).cast("string"), 5, "0").alias("postal_code"))
+
+    def _stg_ef3__schools__identification_codes(self) -> DataFrame:
+        sch = self("stg_ef3__schools").select("tenant_code", "k_school", "school_id")
+        systems = F.filter(F.array(F.lit("NCES"), F.lit("State"), F.when(_mod("school_id", 2) == 0, F.lit("Local")),
+                                   F.when(_mod("school_id", 7) == 0, F.lit("Federal"))), lambda x: x.isNotNull())
+        c = sch.select("*", F.explode(systems).alias("id_system"))
+        return c.select("tenant_code", "k_school", "id_system",
+                        F.concat(F.left("id_system", F.lit(1)), F.col("school_id").cast("string")).alias("id_code"))
+
+    # ---- courses, sections, grading periods, grades (part, lineitem) --------
+    def _part_home(self) -> DataFrame:
+        p = self.t("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+        return p.withColumn("home_school_id", _mod("p_partkey", N_HOME_SCHOOLS)).join(self("home_school"), "home_school_id")
+
+    def _stg_ef3__courses(self) -> DataFrame:
+        p = self("part_home")
+        return p.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+                        key("tenant_code", "p_partkey").alias("k_course"),
+                        key("tenant_code", "home_school_id").alias("k_school"),
+                        F.col("p_partkey").cast("string").alias("course_code"),
+                        F.col("p_name").alias("course_title"),
+                        F.initcap("p_type").alias("academic_subject"))
+
+    def _stg_ef3__sections(self) -> DataFrame:
+        p = self("part_home")
+        return p.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+                        key("tenant_code", "p_partkey", F.lit("S1")).alias("k_course_section"),
+                        key("tenant_code", "p_partkey").alias("k_course"),
+                        key("tenant_code", "home_school_id").alias("k_school"),
+                        key("tenant_code", "home_school_id", F.lit(SCHOOL_YEAR), F.lit("Year Round")).alias("k_session"),
+                        F.concat(F.col("p_partkey").cast("string"), F.lit("-S1")).alias("section_id"),
+                        F.col("p_brand").alias("section_name"),
+                        F.col("p_size").alias("available_credits"))
+
+    def _stg_ef3__grading_periods(self) -> DataFrame:
+        sch = self("stg_ef3__schools").select("tenant_code", "school_id", "k_school")
+        gp = F.explode(F.array(*[F.struct(F.lit(n).alias("grading_period"), F.lit(b).alias("begin_date"),
+                                          F.lit(e).alias("end_date"), F.lit(i + 3).alias("period_sequence"))
+                                 for i, (n, b, e) in enumerate(GRADING_PERIODS)]))
+        g = sch.select("*", gp.alias("g")).select("tenant_code", "school_id", "k_school", "g.*")
+        return g.select("tenant_code", "k_school", F.lit(SCHOOL_YEAR).alias("school_year"),
+                        key("tenant_code", "school_id", F.lit(SCHOOL_YEAR), "grading_period").alias("k_grading_period"),
+                        "grading_period", "begin_date", "end_date", "period_sequence")
+
+    def _stg_ef3__grades(self) -> DataFrame:
+        li = self.t("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag",
+                                       "l_linestatus")
+        o = self.t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+        hs = self("home_school")
+        stu_home = hs.select(F.col("home_school_id").alias("stu_school"), F.col("tenant_code"))
+        part_home = hs.select(F.col("home_school_id").alias("part_school"), F.col("tenant_code").alias("part_tenant"))
+        g = (li.join(o, "l_orderkey")
+             .withColumn("stu_school", _mod("o_custkey", N_HOME_SCHOOLS))
+             .withColumn("part_school", _mod("l_partkey", N_HOME_SCHOOLS))
+             .join(stu_home, "stu_school").join(part_home, "part_school"))
+        period = F.when(_mod("l_linenumber", 2) == 0, F.lit(GRADING_PERIODS[0][0])).otherwise(F.lit(GRADING_PERIODS[1][0]))
+        return g.select(
+            "tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+            key("tenant_code", "o_custkey", F.lit(SCHOOL_YEAR)).alias("k_student"),
+            key("tenant_code", "stu_school").alias("k_school"),
+            key("part_tenant", "l_partkey", F.lit("S1")).alias("k_course_section"),
+            key("tenant_code", "stu_school", F.lit(SCHOOL_YEAR), period).alias("k_grading_period"),
+            F.when(F.col("l_linestatus") == "F", "Final").otherwise("Grading Period").alias("grade_type"),
+            F.col("l_returnflag").alias("letter_grade_earned"),
+            F.col("l_quantity").alias("numeric_grade_earned"),
+        )
