@@ -250,3 +250,105 @@ JOIN o_dim_course_section c ON g.k_course_section = c.k_course_section
 LEFT JOIN xwalk_letter_grades x ON lower(g.letter_grade_earned) = x.letter_grade""",
     "stg_grades", "o_dim_student", "o_dim_school", "o_dim_grading_period", "o_dim_course_section",
     "xwalk_letter_grades")
+
+# ---------------------------------------------------------------- discipline
+cte("error_events", """
+SELECT e.event_id, e.ts, e.user_id, e.value, e.user_id % 10 AS home_school_id, h.tenant_code,
+       CASE WHEN e.value >= 200 THEN 'Major' WHEN e.value >= 50 THEN 'Moderate' ELSE 'Minor' END AS behavior_type,
+       CAST(e.ts AS DATE) AS incident_date
+FROM events e JOIN home_school h ON e.user_id % 10 = h.home_school_id
+WHERE e.event_type = 'error'""", "home_school")
+
+cte("stg_incident_behaviors", f"""
+SELECT {K('tenant_code', 'home_school_id', 'event_id')} AS k_discipline_incident, behavior_type, tenant_code,
+       home_school_id, event_id, user_id
+FROM error_events
+UNION ALL
+SELECT {K('tenant_code', 'home_school_id', 'event_id')}, 'Unlisted', tenant_code, home_school_id, event_id, user_id
+FROM error_events WHERE event_id % 7 = 0""", "error_events")
+
+cte("o_dim_discipline_incident", f"""
+SELECT {K('e.tenant_code', 'e.home_school_id', 'e.event_id')} AS k_discipline_incident,
+       {K('e.tenant_code', 'e.home_school_id')} AS k_school, e.tenant_code, 2024 AS school_year,
+       CAST(e.event_id AS VARCHAR) AS incident_id, e.incident_date, e.value AS incident_cost,
+       (e.event_id % 4 = 0) AS was_reported_to_law_enforcement, b.behavior_array,
+       coalesce(len(b.behavior_array), 0) > 1 AS is_multiple_behaviors
+FROM error_events e
+JOIN o_dim_school s ON {K('e.tenant_code', 'e.home_school_id')} = s.k_school
+LEFT JOIN (SELECT k_discipline_incident, list_sort(list(DISTINCT behavior_type)) AS behavior_array
+           FROM stg_incident_behaviors GROUP BY 1) b
+  ON {K('e.tenant_code', 'e.home_school_id', 'e.event_id')} = b.k_discipline_incident""",
+    "error_events", "o_dim_school", "stg_incident_behaviors")
+
+cte("stg_student_behaviors", f"""
+SELECT tenant_code, 2024 AS school_year, {K('tenant_code', 'user_id', '2024')} AS k_student,
+       {K('tenant_code', 'user_id')} AS k_student_xyear, k_discipline_incident, behavior_type,
+       CAST(event_id AS VARCHAR) AS incident_id, CAST(home_school_id AS VARCHAR) AS school_id,
+       {K('tenant_code', 'home_school_id')} AS k_school
+FROM stg_incident_behaviors""", "stg_incident_behaviors")
+
+cte("stg_discipline_actions", f"""
+SELECT tenant_code, 2024 AS school_year, 2024 AS api_year, {K('tenant_code', 'user_id', '2024')} AS k_student,
+       {K('tenant_code', 'user_id')} AS k_student_xyear, 'A' || CAST(event_id AS VARCHAR) AS discipline_action_id,
+       incident_date AS discipline_date,
+       CASE WHEN event_id % 3 <> 0 THEN {K('tenant_code', 'home_school_id')} END AS k_school__responsibility,
+       CASE WHEN event_id % 3 <> 2 THEN {K('tenant_code', 'home_school_id')} END AS k_school__assignment,
+       CASE WHEN event_id % 3 <> 0 THEN CAST(home_school_id AS VARCHAR) END AS responsibility_school_id,
+       CASE WHEN event_id % 3 <> 2 THEN CAST(home_school_id AS VARCHAR) END AS assignment_school_id,
+       round(value / 10, 0) AS discipline_action_length,
+       CASE WHEN value >= 100 THEN 'Suspension' ELSE 'Detention' END AS first_action,
+       event_id % 3 = 0 AS has_warning,
+       'T' || CAST(user_id % 7 AS VARCHAR) AS staff_unique_id,
+       CAST(event_id AS VARCHAR) AS incident_id, CAST(home_school_id AS VARCHAR) AS school_id,
+       CASE WHEN event_id % 5 <> 0 THEN behavior_type END AS link_behavior_type
+FROM error_events WHERE event_id % 2 = 0""", "error_events")
+
+cte("o_action_behaviors", f"""
+SELECT a.k_student, a.k_student_xyear, a.discipline_action_id, a.discipline_date,
+       list_sort(list({K('a.k_student', 'b.k_discipline_incident', 'lower(b.behavior_type)')}))
+         AS k_student_discipline_incident_behavior_array
+FROM stg_discipline_actions a
+JOIN stg_student_behaviors b
+  ON a.k_student = b.k_student AND a.incident_id = b.incident_id AND a.school_id = b.school_id
+ AND (a.link_behavior_type IS NULL OR a.link_behavior_type = b.behavior_type)
+GROUP BY 1, 2, 3, 4""", "stg_discipline_actions", "stg_student_behaviors")
+
+cte("o_fct_discipline_actions", f"""
+SELECT *, row_number() OVER (PARTITION BY k_student, k_discipline_actions_event
+                             ORDER BY severity_order ASC NULLS LAST, discipline_action ASC NULLS LAST) = 1
+            AS is_most_severe
+FROM (
+  SELECT a.k_student, a.k_student_xyear, coalesce(r.k_school, s.k_school) AS k_school,
+         s.k_school AS k_school__assignment, r.k_school AS k_school__responsibility, a.school_year,
+         {K('a.tenant_code', 'a.api_year', 'a.discipline_action_id', 'a.discipline_date')} AS k_discipline_actions_event,
+         {K('a.tenant_code', 'a.staff_unique_id')} AS k_staff, a.tenant_code, a.discipline_action_id, a.discipline_date,
+         d.action AS discipline_action, a.discipline_action_length,
+         [{K('a.tenant_code', 'a.staff_unique_id')}] AS k_staff_array,
+         l.k_student_discipline_incident_behavior_array,
+         x.severity_order, x.is_oss, x.is_iss, x.is_exp, x.is_minor
+  FROM stg_discipline_actions a
+  JOIN o_dim_student st ON a.k_student = st.k_student
+  LEFT JOIN o_dim_school r ON a.k_school__responsibility = r.k_school
+  LEFT JOIN o_dim_school s ON a.k_school__assignment = s.k_school
+  LEFT JOIN o_action_behaviors l
+    ON a.k_student = l.k_student AND a.k_student_xyear = l.k_student_xyear
+   AND a.discipline_action_id = l.discipline_action_id AND a.discipline_date = l.discipline_date
+  JOIN (SELECT 'first' AS which UNION ALL SELECT 'warning') w ON w.which = 'first' OR a.has_warning
+  CROSS JOIN LATERAL (SELECT CASE WHEN w.which = 'first' THEN a.first_action ELSE 'Warning' END AS action) d
+  LEFT JOIN (VALUES ('Suspension', 1, true, false, false, false), ('Detention', 2, false, true, false, false))
+       x(discipline_action, severity_order, is_oss, is_iss, is_exp, is_minor) ON d.action = x.discipline_action
+  WHERE a.assignment_school_id IS NOT NULL OR a.responsibility_school_id IS NOT NULL
+) t""", "stg_discipline_actions", "o_dim_student", "o_dim_school", "o_action_behaviors")
+
+cte("o_fct_incident_behaviors", f"""
+SELECT {K('b.k_student', 'b.k_discipline_incident', 'lower(b.behavior_type)')} AS k_student_discipline_incident_behavior,
+       b.k_student, b.k_student_xyear, b.k_discipline_incident, b.k_school, b.tenant_code, b.school_year,
+       b.behavior_type, x.severity_order,
+       row_number() OVER (PARTITION BY b.k_student, b.k_discipline_incident
+                          ORDER BY x.severity_order ASC NULLS LAST, b.behavior_type ASC NULLS LAST) = 1
+         AS is_most_severe_behavior
+FROM stg_student_behaviors b
+JOIN o_dim_student s ON b.k_student = s.k_student
+JOIN o_dim_discipline_incident i ON b.k_discipline_incident = i.k_discipline_incident
+LEFT JOIN (VALUES ('Major', 1), ('Moderate', 2), ('Minor', 3)) x(behavior_type, severity_order)
+  ON b.behavior_type = x.behavior_type""", "stg_student_behaviors", "o_dim_student", "o_dim_discipline_incident")

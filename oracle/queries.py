@@ -46,3 +46,10 @@ final("ds_dim_course_section", "o_dim_course_section", bigint=("school_year", "a
 final("ds_dim_grading_period", "o_dim_grading_period", bigint=("school_year", "period_sequence"))
 final("ds_fct_student_grades", "o_fct_grades", bigint=("school_year", "grade_sort_index"),
       double=("unweighted_gpa_points",))
+final("ds_dim_discipline_incident", "o_dim_discipline_incident", bigint=("school_year",), lists=("behavior_array",))
+final("ds_stu_discipline_action__stu_incident_behavior", "o_action_behaviors",
+      lists=("k_student_discipline_incident_behavior_array",))
+final("ds_fct_student_discipline_actions", "o_fct_discipline_actions", bigint=("school_year", "severity_order"),
+      lists=("k_staff_array", "k_student_discipline_incident_behavior_array"))
+final("ds_fct_student_discipline_incident_behaviors", "o_fct_incident_behaviors",
+      bigint=("school_year", "severity_order"))

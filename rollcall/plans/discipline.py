@@ -1,3 +1,111 @@
-"""discipline datasets."""
+"""Discipline: incidents, behaviors, actions."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.columns import descriptor_short
+from ..functions.keys import surrogate_key
+from ..operators.dedupe import flag_first
+from ..operators.joins import seed, wildcard_condition
+from ..operators.sets import sorted_array, sorted_distinct_array
+from .registry import dataset
+
+_DISCIPLINES = "array<struct<disciplineDescriptor:string>>"
+_STAFFS = "array<struct<staffReference:struct<staffUniqueId:string>>>"
+
+
+@dataset("dim_discipline_incident", grain=("k_discipline_incident",), domain="discipline")
+def dim_discipline_incident(wh) -> DataFrame:
+    """Incidents at known schools (J1) with their distinct behaviors (A12) and
+    a several-behaviors flag (F22 size)."""
+    inc = wh("stg_ef3__discipline_incidents")
+    beh = (wh("stg_ef3__discipline_incidents__behaviors").groupBy("k_discipline_incident")
+           .agg(sorted_distinct_array("behavior_type").alias("behavior_array")))
+    j = inc.join(wh("dim_school").select("k_school"), "k_school").join(beh, "k_discipline_incident", "left")
+    return j.select("k_discipline_incident", "k_school", "tenant_code", "school_year", "incident_id", "incident_date",
+                    "incident_cost", "was_reported_to_law_enforcement", "behavior_array",
+                    (F.coalesce(F.size("behavior_array"), F.lit(0)) > 1).alias("is_multiple_behaviors"))
+
+
+@dataset("bld_stu_discipline_action__stu_incident_behavior", domain="discipline",
+         grain=("k_student", "k_student_xyear", "discipline_action_id", "discipline_date"))
+def action_incident_behaviors(wh) -> DataFrame:
+    """Behavior keys linked to each action.  The link's behavior
+    type is optional: NULL matches every behavior of the incident."""
+    act = wh("stg_ef3__discipline_actions").select(
+        "k_student", "k_student_xyear", "discipline_action_id", "discipline_date", "incident_id", "school_id",
+        "link_behavior_type")
+    beh = wh("stg_ef3__student_discipline_incident_behavior_associations").select(
+        F.col("k_student").alias("__b_student"), F.col("incident_id").alias("__b_incident"),
+        F.col("school_id").alias("__b_school"), "k_discipline_incident", "behavior_type")
+    cond = ((act.k_student == beh.__b_student) & (act.incident_id == beh.__b_incident)
+            & (act.school_id == beh.__b_school)
+            & (act.link_behavior_type.isNull() | (act.link_behavior_type == beh.behavior_type)))
+    j = act.join(beh, cond)
+    k = surrogate_key("k_student", "k_discipline_incident", F.lower("behavior_type"))
+    return j.groupBy("k_student", "k_student_xyear", "discipline_action_id", "discipline_date").agg(
+        sorted_array(k).alias("k_student_discipline_incident_behavior_array"))
+
+
+@dataset("fct_student_discipline_actions", domain="discipline",
+         grain=("k_student", "k_discipline_actions_event", "discipline_action"))
+def fct_student_discipline_actions(wh) -> DataFrame:
+    """One row per action and discipline type (U4 explode of the JSON list,
+    F8 descriptor code), school = responsibility else assignment (J12), staff
+    keys from nested references (F2, A11), severity from the crosswalk and a
+    most-severe flag per action event (W3)."""
+    a = wh("stg_ef3__discipline_actions").filter(
+        F.col("assignment_school_id").isNotNull() | F.col("responsibility_school_id").isNotNull())
+    stu = wh("dim_student").select("k_student")
+    resp = wh("dim_school").select(F.col("k_school").alias("k_school__responsibility"), F.lit(1).alias("__r"))
+    asg = wh("dim_school").select(F.col("k_school").alias("k_school__assignment"), F.lit(1).alias("__a"))
+    links = wh("bld_stu_discipline_action__stu_incident_behavior")
+    staff = F.from_json("v_staffs", _STAFFS)
+    staff_keys = F.transform(staff, lambda s: surrogate_key(F.col("tenant_code"), s["staffReference"]["staffUniqueId"]))
+    j = (a.join(stu, "k_student")
+         .join(resp, "k_school__responsibility", "left").join(asg, "k_school__assignment", "left")
+         .join(links, ["k_student", "k_student_xyear", "discipline_action_id", "discipline_date"], "left"))
+    j = j.select(
+        "k_student", "k_student_xyear",
+        F.coalesce(F.when(F.col("__r").isNotNull(), F.col("k_school__responsibility")),
+                   F.when(F.col("__a").isNotNull(), F.col("k_school__assignment"))).alias("k_school"),
+        F.when(F.col("__a").isNotNull(), F.col("k_school__assignment")).alias("k_school__assignment"),
+        F.when(F.col("__r").isNotNull(), F.col("k_school__responsibility")).alias("k_school__responsibility"),
+        "school_year",
+        surrogate_key("tenant_code", "api_year", "discipline_action_id", "discipline_date").alias(
+            "k_discipline_actions_event"),
+        F.array_max(staff_keys).alias("k_staff"),
+        "tenant_code", "discipline_action_id", "discipline_date",
+        F.explode(F.from_json("v_disciplines", _DISCIPLINES)).alias("__d"),
+        "discipline_action_length", F.array_sort(staff_keys).alias("k_staff_array"),
+        "k_student_discipline_incident_behavior_array")
+    j = j.withColumn("discipline_action", descriptor_short(F.col("__d.disciplineDescriptor"))).drop("__d")
+    xw = seed(wh("xwalk_discipline_actions"))
+    j = j.join(xw, "discipline_action", "left")
+    j = flag_first(j, "is_most_severe", ["k_student", "k_discipline_actions_event"],
+                   [F.col("severity_order").asc_nulls_last(), F.col("discipline_action").asc_nulls_last()])
+    return j.select("k_student", "k_student_xyear", "k_school", "k_school__assignment", "k_school__responsibility",
+                    "school_year", "k_discipline_actions_event", "k_staff", "tenant_code", "discipline_action_id",
+                    "discipline_date", "discipline_action", "discipline_action_length", "k_staff_array",
+                    "k_student_discipline_incident_behavior_array", "severity_order", "is_oss", "is_iss", "is_exp",
+                    "is_minor", "is_most_severe")
+
+
+@dataset("fct_student_discipline_incident_behaviors", domain="discipline",
+         grain=("k_student", "k_discipline_incident", "behavior_type"))
+def fct_student_discipline_incident_behaviors(wh) -> DataFrame:
+    """Offender behaviors of known students and incidents (J1), severity from
+    the crosswalk (J2), most-severe flag per student and incident (W3)."""
+    b = wh("stg_ef3__student_discipline_incident_behavior_associations")
+    stu = wh("dim_student").select("k_student")
+    inc = wh("dim_discipline_incident").select("k_discipline_incident")
+    xw = seed(wh("xwalk_discipline_behaviors"))
+    j = b.join(stu, "k_student").join(inc, "k_discipline_incident").join(xw, "behavior_type", "left")
+    j = flag_first(j, "is_most_severe_behavior", ["k_student", "k_discipline_incident"],
+                   [F.col("severity_order").asc_nulls_last(), F.col("behavior_type").asc_nulls_last()])
+    return j.select(surrogate_key("k_student", "k_discipline_incident", F.lower("behavior_type"))
+                    .alias("k_student_discipline_incident_behavior"),
+                    "k_student", "k_student_xyear", "k_discipline_incident", "k_school", "tenant_code",
+                    "school_year", "behavior_type", "severity_order", "is_most_severe_behavior")

@@ -87,6 +87,12 @@ DISCIPLINE_BEHAVIORS = [
     ("Minor", 3),
 ]
 
+# fixed values: discipline actions -> severity and suspension/expulsion flags
+DISCIPLINE_ACTIONS = [
+    ("Suspension", 1, True, False, False, False),
+    ("Detention", 2, False, True, False, False),
+]
+
 # fixed values: student characteristic descriptors -> indicator column names
 STUDENT_CHARACTERISTICS = [
     ("Economic Disadvantaged", "is_economic_disadvantaged"),
@@ -105,6 +111,7 @@ _SCHEMAS = {
     "xwalk_subgroup_value_display_names": "subgroup_category string, subgroup_value string, subgroup_value_display_name string",
     "xwalk_student_programs": "program_name string, indicator_name string, is_active boolean, is_annual boolean, is_ever boolean",
     "xwalk_discipline_behaviors": "behavior_type string, severity_order int",
+    "xwalk_discipline_actions": "discipline_action string, severity_order int, is_oss boolean, is_iss boolean, is_exp boolean, is_minor boolean",
     "xwalk_student_characteristics": "characteristic_descriptor string, indicator_name string",
 }
 
@@ -119,6 +126,7 @@ _ROWS = {
     "xwalk_subgroup_value_display_names": SUBGROUP_VALUE_NAMES,
     "xwalk_student_programs": STUDENT_PROGRAMS,
     "xwalk_discipline_behaviors": DISCIPLINE_BEHAVIORS,
+    "xwalk_discipline_actions": DISCIPLINE_ACTIONS,
     "xwalk_student_characteristics": STUDENT_CHARACTERISTICS,
 }
 

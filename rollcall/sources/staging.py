@@ -479,3 +479,68 @@ class Staging:
             F.col("l_returnflag").alias("letter_grade_earned"),
             F.col("l_quantity").alias("numeric_grade_earned"),
         )
+
+    # ---- discipline (events of type 'error') --------------------------------
+    def _error_events(self) -> DataFrame:
+        ev = (self.t("events").select("event_id", "ts", "user_id", "event_type", "value")
+              .filter(F.col("event_type") == "error"))
+        ev = ev.withColumn("home_school_id", _mod("user_id", N_HOME_SCHOOLS)).join(self("home_school"), "home_school_id")
+        band = F.when(F.col("value") >= 200, "Major").when(F.col("value") >= 50, "Moderate").otherwise("Minor")
+        return ev.withColumn("behavior_type", band).withColumn("incident_date", F.to_date("ts"))
+
+    def _stg_ef3__discipline_incidents(self) -> DataFrame:
+        e = self("error_events")
+        return e.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+                        key("tenant_code", "home_school_id", "event_id").alias("k_discipline_incident"),
+                        key("tenant_code", "home_school_id").alias("k_school"),
+                        F.col("event_id").cast("string").alias("incident_id"),
+                        F.col("home_school_id").cast("string").alias("school_id"),
+                        "incident_date", F.col("value").alias("incident_cost"),
+                        (_mod("event_id", 4) == 0).alias("was_reported_to_law_enforcement"))
+
+    def _stg_ef3__discipline_incidents__behaviors(self) -> DataFrame:
+        e = self("error_events")
+        types = F.when(_mod("event_id", 7) == 0, F.array("behavior_type", F.lit("Unlisted"))).otherwise(
+            F.array("behavior_type"))
+        return e.select(key("tenant_code", "home_school_id", "event_id").alias("k_discipline_incident"),
+                        F.explode(types).alias("behavior_type"))
+
+    def _stg_ef3__student_discipline_incident_behavior_associations(self) -> DataFrame:
+        b = self("stg_ef3__discipline_incidents__behaviors")
+        e = self("error_events").select("tenant_code", "home_school_id", "event_id", "user_id",
+                                        key("tenant_code", "home_school_id", "event_id").alias("k_discipline_incident"))
+        j = b.join(e, "k_discipline_incident")
+        return j.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+                        key("tenant_code", "user_id", F.lit(SCHOOL_YEAR)).alias("k_student"),
+                        key("tenant_code", "user_id").alias("k_student_xyear"),
+                        "k_discipline_incident", "behavior_type",
+                        F.col("event_id").cast("string").alias("incident_id"),
+                        F.col("home_school_id").cast("string").alias("school_id"),
+                        key("tenant_code", "home_school_id").alias("k_school"))
+
+    def _stg_ef3__discipline_actions(self) -> DataFrame:
+        e = self("error_events").filter(_mod("event_id", 2) == 0)
+        school = key("tenant_code", "home_school_id")
+        uri = "uri://rollcall.example/DisciplineDescriptor#"
+        one = F.concat(F.lit('[{"disciplineDescriptor": "' + uri),
+                       F.when(F.col("value") >= 100, F.lit("Suspension")).otherwise(F.lit("Detention")), F.lit('"}'))
+        more = F.when(_mod("event_id", 3) == 0, F.lit(', {"disciplineDescriptor": "' + uri + 'Warning"}')).otherwise(F.lit(""))
+        staffs = F.concat(F.lit('[{"staffReference": {"staffUniqueId": "T'), _mod("user_id", 7).cast("string"),
+                          F.lit('"}}]'))
+        return e.select(
+            "tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"), F.lit(SCHOOL_YEAR).alias("api_year"),
+            key("tenant_code", "user_id", F.lit(SCHOOL_YEAR)).alias("k_student"),
+            key("tenant_code", "user_id").alias("k_student_xyear"),
+            F.concat(F.lit("A"), F.col("event_id").cast("string")).alias("discipline_action_id"),
+            F.col("incident_date").alias("discipline_date"),
+            F.when(_mod("event_id", 3) != 0, school).alias("k_school__responsibility"),
+            F.when(_mod("event_id", 3) != 2, school).alias("k_school__assignment"),
+            F.when(_mod("event_id", 3) != 0, F.col("home_school_id").cast("string")).alias("responsibility_school_id"),
+            F.when(_mod("event_id", 3) != 2, F.col("home_school_id").cast("string")).alias("assignment_school_id"),
+            F.round(F.col("value") / 10, 0).alias("discipline_action_length"),
+            F.concat(one, more, F.lit("]")).alias("v_disciplines"),
+            staffs.alias("v_staffs"),
+            F.col("event_id").cast("string").alias("incident_id"),
+            F.col("home_school_id").cast("string").alias("school_id"),
+            F.when(_mod("event_id", 5) != 0, F.col("behavior_type")).alias("link_behavior_type"),
+        )
