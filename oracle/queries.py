@@ -53,3 +53,21 @@ final("ds_fct_student_discipline_actions", "o_fct_discipline_actions", bigint=("
       lists=("k_staff_array", "k_student_discipline_incident_behavior_array"))
 final("ds_fct_student_discipline_incident_behaviors", "o_fct_incident_behaviors",
       bigint=("school_year", "severity_order"))
+final("dq_d4_attendance_event_codes", "o_dq_d4")
+final("dq_d5_behavior_types", "o_dq_d5")
+final("dq_d6_calendar_event_codes", "o_dq_d6")
+final("dq_d7_discipline_actions", "o_dq_d7")
+final("dq_d8_letter_grades", "o_dq_d8")
+final("dq_d12_attendance_dates_without_calendar", "o_dq_d12")
+final("dq_d13_enrollments_with_ambiguous_calendars", "o_dq_d13", bigint=("school_year",), double=("pct_missing",))
+final("dq_d20_missing_demographics", "o_dq_d20", bigint=("api_year",))
+final("dq_d25_attendance_event_duplicates", "o_dq_d25", double=("is_absent",))
+final("ds_qc_attendance_freshness", "o_qc_freshness", bigint=("school_year",))
+final("dq_d26_attendance_freshness", "o_dq_d26", bigint=("school_year",))
+final("dq_d28_invalid_enrollments", "o_dq_d28", bigint=("school_year", "enrollment_seq"))
+final("dq_d29_overlapping_enrollments", "o_dq_d29")
+final("dq_d30_student_attendance_total_days", "o_dq_d30", bigint=("school_year", "absentee_category_rank"),
+      double=("days_absent", "days_attended", "days_enrolled", "attendance_rate"))
+final("dq_d32_grain_fct_student_grades", "o_dq_d32_grades")
+final("dq_d32_grain_fct_student_daily_attendance", "o_dq_d32_daily")
+final("dq_d33_orphan_grade_students", "o_dq_d33_grades")
