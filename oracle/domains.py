@@ -352,3 +352,48 @@ JOIN o_dim_student s ON b.k_student = s.k_student
 JOIN o_dim_discipline_incident i ON b.k_discipline_incident = i.k_discipline_incident
 LEFT JOIN (VALUES ('Major', 1), ('Moderate', 2), ('Minor', 3)) x(behavior_type, severity_order)
   ON b.behavior_type = x.behavior_type""", "stg_student_behaviors", "o_dim_student", "o_dim_discipline_incident")
+
+cte("o_q3", """
+SELECT entry_grade_level, count(DISTINCT k_student) AS n_students
+FROM o_fct_enrollment WHERE is_active_enrollment GROUP BY 1""", "o_fct_enrollment")
+
+cte("o_q4", """
+SELECT school_year, count(DISTINCT k_student) AS n_students
+FROM o_fct_enrollment
+WHERE entry_date < make_date(school_year, 3, 1)
+  AND (exit_withdraw_date >= make_date(school_year, 2, 1) OR exit_withdraw_date IS NULL)
+GROUP BY 1""", "o_fct_enrollment")
+
+cte("o_q5", """
+SELECT d.school_id, d.school_name, c.discipline_date, c.discipline_action, c.is_iss, c.is_oss, c.n_actions
+FROM (SELECT k_school, discipline_date, discipline_action, is_iss, is_oss, count(*) AS n_actions
+      FROM o_fct_discipline_actions GROUP BY 1, 2, 3, 4, 5) c
+JOIN o_dim_school d ON c.k_school = d.k_school""", "o_fct_discipline_actions", "o_dim_school")
+
+cte("o_q6", f"""
+SELECT *, {RATE('n_students_suspended', 'n_students_enrolled')} AS suspension_rate
+FROM (SELECT k_school, school_year, sum(CAST(n_oss + n_iss > 0 AS INTEGER)) AS n_students_suspended,
+             count(*) AS n_students_enrolled
+      FROM (SELECT s.k_student, s.k_school, s.school_year,
+                   sum(coalesce(CAST(d.is_oss AS INTEGER), 0)) AS n_oss,
+                   sum(coalesce(CAST(d.is_iss AS INTEGER), 0)) AS n_iss
+            FROM (SELECT *, date_diff('day', entry_date,
+                                      coalesce(exit_withdraw_date, make_date(school_year, 6, 30))) AS n_days_enrolled
+                  FROM o_fct_enrollment WHERE is_primary_school
+                  QUALIFY row_number() OVER (PARTITION BY k_student
+                                             ORDER BY n_days_enrolled DESC NULLS FIRST,
+                                                      exit_withdraw_date DESC NULLS FIRST, k_school ASC) = 1) s
+            LEFT JOIN o_fct_discipline_actions d ON s.k_student = d.k_student AND s.k_school = d.k_school
+            GROUP BY 1, 2, 3) t
+      GROUP BY 1, 2) u""", "o_fct_enrollment", "o_fct_discipline_actions")
+
+cte("o_q9", """
+SELECT a.k_student, a.school_year, a.k_program, p.program_type, p.program_id, p.program_name,
+       a.program_enroll_begin_date, a.program_enroll_end_date, s.program_service, s.service_begin_date,
+       s.service_end_date
+FROM o_fct_program_assoc a
+JOIN o_dim_program p ON a.k_program = p.k_program
+LEFT JOIN o_fct_program_service s
+  ON a.k_student = s.k_student AND a.k_program = s.k_program
+ AND a.program_enroll_begin_date = s.program_enroll_begin_date""",
+    "o_fct_program_assoc", "o_dim_program", "o_fct_program_service")

@@ -71,3 +71,8 @@ final("dq_d30_student_attendance_total_days", "o_dq_d30", bigint=("school_year",
 final("dq_d32_grain_fct_student_grades", "o_dq_d32_grades")
 final("dq_d32_grain_fct_student_daily_attendance", "o_dq_d32_daily")
 final("dq_d33_orphan_grade_students", "o_dq_d33_grades")
+final("q3_active_students_by_grade", "o_q3")
+final("q4_enrolled_in_february", "o_q4", bigint=("school_year",))
+final("q5_discipline_counts", "o_q5")
+final("q6_suspension_rate", "o_q6", bigint=("school_year", "n_students_suspended"), double=("suspension_rate",))
+final("q9_program_enrollments_with_services", "o_q9", bigint=("school_year",))

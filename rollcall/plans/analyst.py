@@ -40,7 +40,73 @@ def q2_attendance_rate_by_subgroup(wh) -> DataFrame:
     return out.withColumn("attendance_rate", rate_pct("total_days_attended", "total_days_enrolled"))
 
 
+def q3_active_students_by_grade(wh) -> DataFrame:
+    """Q3: distinct actively enrolled students per entry grade."""
+    e = wh.table("fct_student_school_association").filter(F.col("is_active_enrollment"))
+    return e.groupBy("entry_grade_level").agg(F.countDistinct("k_student").alias("n_students"))
+
+
+def q4_enrolled_in_february(wh) -> DataFrame:
+    """Q4: students enrolled at some point in February of each school year."""
+    e = wh.table("fct_student_school_association")
+    feb1 = F.make_date("school_year", F.lit(2), F.lit(1))
+    mar1 = F.make_date("school_year", F.lit(3), F.lit(1))
+    e = e.filter((F.col("entry_date") < mar1)
+                 & ((F.col("exit_withdraw_date") >= feb1) | F.col("exit_withdraw_date").isNull()))
+    return e.groupBy("school_year").agg(F.countDistinct("k_student").alias("n_students"))
+
+
+def q5_discipline_counts(wh) -> DataFrame:
+    """Q5: discipline actions by school, date and action type."""
+    a = wh.table("fct_student_discipline_actions")
+    counts = a.groupBy("k_school", "discipline_date", "discipline_action", "is_iss", "is_oss").agg(
+        F.count(F.lit(1)).alias("n_actions"))
+    d = wh.table("dim_school").select("k_school", "school_id", "school_name")
+    return counts.join(d, "k_school").select("school_id", "school_name", "discipline_date", "discipline_action",
+                                             "is_iss", "is_oss", "n_actions")
+
+
+def q6_suspension_rate(wh) -> DataFrame:
+    """Q6: suspension rate per school and year.  Each student is assigned to
+    their longest primary enrollment (W1), actions are left-joined on student
+    and school (J2), suspensions counted (A5) and rated (A18)."""
+    from ..operators.dedupe import deduplicate
+    e = wh.table("fct_student_school_association").filter(F.col("is_primary_school"))
+    inferred = F.coalesce(F.col("exit_withdraw_date"), F.make_date("school_year", F.lit(6), F.lit(30)))
+    e = e.withColumn("n_days_enrolled", F.datediff(inferred, F.col("entry_date")))
+    e = deduplicate(e, ["k_student"], [F.col("n_days_enrolled").desc_nulls_first(),
+                                       F.col("exit_withdraw_date").desc_nulls_first(), F.col("k_school").asc()])
+    a = wh.table("fct_student_discipline_actions").select("k_student", "k_school", "is_oss", "is_iss")
+    j = e.select("k_student", "k_school", "school_year").join(a, ["k_student", "k_school"], "left")
+    per = j.groupBy("k_student", "k_school", "school_year").agg(
+        F.sum(F.coalesce(F.col("is_oss").cast("int"), F.lit(0))).alias("n_oss"),
+        F.sum(F.coalesce(F.col("is_iss").cast("int"), F.lit(0))).alias("n_iss"))
+    per = per.withColumn("has_any_suspension", (F.col("n_oss") + F.col("n_iss")) > 0)
+    out = per.groupBy("k_school", "school_year").agg(
+        F.sum(F.col("has_any_suspension").cast("int")).alias("n_students_suspended"),
+        F.count(F.lit(1)).alias("n_students_enrolled"))
+    return out.withColumn("suspension_rate", rate_pct("n_students_suspended", "n_students_enrolled"))
+
+
+def q9_program_enrollments_with_services(wh) -> DataFrame:
+    """Q9: program enrollments (J1 to programs) with their services."""
+    a = wh.table("fct_student_program_association")
+    p = wh.table("dim_program").select("k_program", "program_type", "program_id", "program_name")
+    s = wh.table("fct_student_program_service").select(
+        "k_student", "k_program", "program_enroll_begin_date", "program_service", "service_begin_date",
+        "service_end_date")
+    return (a.join(p, "k_program").join(s, ["k_student", "k_program", "program_enroll_begin_date"], "left")
+            .select("k_student", "school_year", "k_program", "program_type", "program_id", "program_name",
+                    "program_enroll_begin_date", "program_enroll_end_date", "program_service",
+                    "service_begin_date", "service_end_date"))
+
+
 QUERIES = {
     "q1_students_by_subgroup": q1_students_by_subgroup,
     "q2_attendance_rate_by_subgroup": q2_attendance_rate_by_subgroup,
+    "q3_active_students_by_grade": q3_active_students_by_grade,
+    "q4_enrolled_in_february": q4_enrolled_in_february,
+    "q5_discipline_counts": q5_discipline_counts,
+    "q6_suspension_rate": q6_suspension_rate,
+    "q9_program_enrollments_with_services": q9_program_enrollments_with_services,
 }

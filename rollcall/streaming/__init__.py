@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference computes every dataset as a batch full refresh and has no
+stream, watermark, incremental or snapshot logic (SURVEY §2.10), so there is
+no streaming operator to rebuild.  Time-relative logic is the run date
+(``Config.as_of``).
+"""
