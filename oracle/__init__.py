@@ -13,11 +13,13 @@ ORACLE: dict[str, str] = {}
 
 
 def final(name: str, source: str, bigint: tuple[str, ...] = (), double: tuple[str, ...] = (),
-          lists: tuple[str, ...] = (), exclude: tuple[str, ...] = ()) -> None:
+          lists: tuple[str, ...] = (), exclude: tuple[str, ...] = (), json_lists: tuple[str, ...] = ()) -> None:
     """Register ``SELECT * FROM source`` with engine-neutral column types."""
     reps = [f"CAST({c} AS BIGINT) AS {c}" for c in bigint]
     reps += [f"CAST({c} AS DOUBLE) AS {c}" for c in double]
     reps += [f"array_to_string({c}, ',') AS {c}" for c in lists]
+    reps += [f"array_to_string(list_sort(list_transform({c}, lambda x: CAST(to_json(x) AS VARCHAR))), ';') AS {c}"
+             for c in json_lists]
     sel = "*"
     if exclude:
         sel += f" EXCLUDE ({', '.join(exclude)})"

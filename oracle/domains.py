@@ -397,3 +397,94 @@ LEFT JOIN o_fct_program_service s
   ON a.k_student = s.k_student AND a.k_program = s.k_program
  AND a.program_enroll_begin_date = s.program_enroll_begin_date""",
     "o_fct_program_assoc", "o_dim_program", "o_fct_program_service")
+
+# ---------------------------------------------------------------- assessments
+_NS = "'uri://rollcall.example/assessment'"
+
+cte("stg_assessments", f"""
+SELECT tenant_code, 2024 AS api_year, {K('tenant_code', "'ASMT'", 'o_orderpriority')} AS k_assessment,
+       o_orderpriority AS assessment_identifier, {_NS} AS namespace,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Screener' ELSE 'Benchmark' END AS assessment_family,
+       'Assessment ' || o_orderpriority AS assessment_title, 'Mathematics' AS academic_subject
+FROM (SELECT DISTINCT tenant_code, o_orderpriority FROM orders_home) t""", "orders_home")
+
+cte("o_dim_assessment", """
+SELECT a.k_assessment, a.tenant_code, a.api_year AS school_year, a.assessment_identifier, a.namespace,
+       a.assessment_title, a.academic_subject, a.assessment_family,
+       ['Percentile', 'Raw Score', 'Scale Score'] AS scores_array,
+       [{'performance_level_name': 'Approaching', 'performance_level_value': '2'},
+        {'performance_level_name': 'Below', 'performance_level_value': '1'},
+        {'performance_level_name': 'Proficient', 'performance_level_value': '3'}] AS performance_levels_array,
+       ['Fourth grade', 'Third grade'] AS grades_array
+FROM stg_assessments a""", "stg_assessments")
+
+cte("stg_student_assessments", f"""
+SELECT tenant_code, 2024 AS api_year, school_year, {K('tenant_code', 'o_orderkey')} AS k_student_assessment,
+       {K('tenant_code', "'ASMT'", 'o_orderpriority')} AS k_assessment,
+       {K('tenant_code', 'o_custkey', 'school_year')} AS k_student, {K('tenant_code', 'o_custkey')} AS k_student_xyear,
+       CAST(o_orderkey AS VARCHAR) AS student_assessment_identifier, o_orderpriority AS assessment_identifier,
+       {_NS} AS namespace, begin_date AS administration_date,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'Third grade' ELSE 'Fourth grade' END AS when_assessed_grade_level
+FROM orders_home""", "orders_home")
+
+cte("o_long_results", f"""
+WITH stacked AS (
+  SELECT o.tenant_code, 2024 AS api_year, {K('o.tenant_code', 'o.o_orderkey')} AS k_student_assessment,
+         {K('o.tenant_code', "'ASMT'", 'o.o_orderpriority')} AS k_assessment, o.o_orderpriority AS assessment_identifier,
+         {_NS} AS namespace,
+         CASE l.l_linenumber % 3 WHEN 0 THEN 'Scale Score' WHEN 1 THEN 'Raw Score' ELSE 'Percentile' END AS score_name,
+         CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) AS score_result
+  FROM lineitem l JOIN orders_home o ON l.l_orderkey = o.o_orderkey
+  UNION ALL
+  SELECT tenant_code, 2024, {K('tenant_code', 'o_orderkey')}, {K('tenant_code', "'ASMT'", 'o_orderpriority')},
+         o_orderpriority, {_NS}, 'Proficiency',
+         CASE o_orderstatus WHEN 'F' THEN 'Proficient' WHEN 'O' THEN 'Approaching' ELSE 'Below' END
+  FROM orders_home
+  UNION ALL
+  SELECT tenant_code, 2024, {K('tenant_code', 'o_orderkey')}, {K('tenant_code', "'ASMT'", 'o_orderpriority')},
+         o_orderpriority, {_NS}, 'Scale Score', 'Z'
+  FROM orders_home WHERE o_orderkey % 5 = 0
+), deduped AS (
+  SELECT * FROM stacked
+  QUALIFY row_number() OVER (PARTITION BY k_student_assessment, score_name ORDER BY score_result DESC NULLS FIRST) = 1
+)
+SELECT d.tenant_code, d.api_year, d.k_student_assessment, d.score_name AS original_score_name,
+       coalesce(x.n, 'other') AS normalized_score_name, d.score_result
+FROM deduped d
+LEFT JOIN o_dim_assessment f ON d.k_assessment = f.k_assessment
+LEFT JOIN (VALUES (NULL, {_NS}, NULL, 'Scale Score', 'scale_score'),
+                  ('1-URGENT', {_NS}, NULL, 'Raw Score', 'raw_score'),
+                  (NULL, {_NS}, 'Benchmark', 'Raw Score', 'raw_score'),
+                  (NULL, {_NS}, NULL, 'Proficiency', 'performance_level')) x(i, ns, fam, s, n)
+  ON d.namespace = x.ns AND d.score_name = x.s
+ AND coalesce(x.i, '1') = CASE WHEN x.i IS NULL THEN '1' ELSE d.assessment_identifier END
+ AND coalesce(x.fam, '1') = CASE WHEN x.fam IS NULL THEN '1' ELSE f.assessment_family END""",
+    "orders_home", "o_dim_assessment")
+
+cte("o_fct_student_assessment", """
+SELECT a.k_student_assessment, a.k_assessment, s.k_student, a.k_student_xyear, a.tenant_code,
+       a.student_assessment_identifier, a.school_year, a.administration_date, a.when_assessed_grade_level,
+       w.performance_level, w.raw_score, w.scale_score, o.v_other_results
+FROM stg_student_assessments a
+LEFT JOIN o_dim_student s ON a.k_student = s.k_student
+LEFT JOIN (SELECT k_student_assessment,
+                  max(CASE WHEN normalized_score_name = 'performance_level' THEN score_result END) AS performance_level,
+                  max(CASE WHEN normalized_score_name = 'raw_score' THEN score_result END) AS raw_score,
+                  max(CASE WHEN normalized_score_name = 'scale_score' THEN score_result END) AS scale_score
+           FROM o_long_results WHERE normalized_score_name <> 'other' GROUP BY 1) w
+  ON a.k_student_assessment = w.k_student_assessment
+LEFT JOIN (SELECT k_student_assessment,
+                  array_to_string(list_sort(list(original_score_name || '=' || score_result)), ',') AS v_other_results
+           FROM o_long_results WHERE normalized_score_name = 'other' GROUP BY 1) o
+  ON a.k_student_assessment = o.k_student_assessment
+WHERE a.k_student_xyear IN (SELECT k_student_xyear FROM o_dim_student)""",
+    "stg_student_assessments", "o_dim_student", "o_long_results")
+
+cte("o_q10", """
+SELECT a.k_student_assessment, s.k_student, a.school_year, TRY_CAST(l.score_result AS INTEGER) AS percentile
+FROM stg_student_assessments a
+LEFT JOIN o_dim_student s ON a.k_student = s.k_student
+LEFT JOIN (SELECT * FROM o_long_results WHERE normalized_score_name = 'other' AND original_score_name = 'Percentile') l
+  ON a.k_student_assessment = l.k_student_assessment
+WHERE a.k_student_xyear IN (SELECT k_student_xyear FROM o_dim_student)""",
+    "stg_student_assessments", "o_dim_student", "o_long_results")

@@ -76,3 +76,8 @@ final("q4_enrolled_in_february", "o_q4", bigint=("school_year",))
 final("q5_discipline_counts", "o_q5")
 final("q6_suspension_rate", "o_q6", bigint=("school_year", "n_students_suspended"), double=("suspension_rate",))
 final("q9_program_enrollments_with_services", "o_q9", bigint=("school_year",))
+final("ds_dim_assessment", "o_dim_assessment", bigint=("school_year",),
+      lists=("scores_array", "grades_array"), json_lists=("performance_levels_array",))
+final("ds_student_assessments_long_results", "o_long_results", bigint=("api_year",))
+final("ds_fct_student_assessment", "o_fct_student_assessment", bigint=("school_year",))
+final("q10_other_result_score", "o_q10", bigint=("school_year", "percentile"))

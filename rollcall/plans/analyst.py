@@ -101,6 +101,13 @@ def q9_program_enrollments_with_services(wh) -> DataFrame:
                     "service_begin_date", "service_end_date"))
 
 
+def q10_other_result_score(wh) -> DataFrame:
+    """Q10: one named score pulled out of the other-results map (F23), as an integer."""
+    a = wh.table("fct_student_assessment")
+    return a.select("k_student_assessment", "k_student", "school_year",
+                    F.try_element_at("v_other_results", F.lit("Percentile")).try_cast("int").alias("percentile"))
+
+
 QUERIES = {
     "q1_students_by_subgroup": q1_students_by_subgroup,
     "q2_attendance_rate_by_subgroup": q2_attendance_rate_by_subgroup,
@@ -109,4 +116,5 @@ QUERIES = {
     "q5_discipline_counts": q5_discipline_counts,
     "q6_suspension_rate": q6_suspension_rate,
     "q9_program_enrollments_with_services": q9_program_enrollments_with_services,
+    "q10_other_result_score": q10_other_result_score,
 }

@@ -122,7 +122,7 @@ class Warehouse:
 def load_all() -> dict[str, Dataset]:
     """Import every plan module so their datasets register."""
     from . import (  # noqa: F401
-        attendance, calendar, checks, discipline, enrollment, finance, grades, orgs,
+        assessments, attendance, calendar, checks, discipline, enrollment, finance, grades, orgs,
         programs, students, subgroups,
     )
     return DATASETS

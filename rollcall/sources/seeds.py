@@ -93,6 +93,14 @@ DISCIPLINE_ACTIONS = [
     ("Detention", 2, False, True, False, False),
 ]
 
+# fixed values: assessment score crosswalk (NULL identifier / family match any)
+ASSESSMENT_SCORES = [
+    (None, "uri://rollcall.example/assessment", None, "Scale Score", "scale_score"),
+    ("1-URGENT", "uri://rollcall.example/assessment", None, "Raw Score", "raw_score"),
+    (None, "uri://rollcall.example/assessment", "Benchmark", "Raw Score", "raw_score"),
+    (None, "uri://rollcall.example/assessment", None, "Proficiency", "performance_level"),
+]
+
 # fixed values: student characteristic descriptors -> indicator column names
 STUDENT_CHARACTERISTICS = [
     ("Economic Disadvantaged", "is_economic_disadvantaged"),
@@ -111,6 +119,7 @@ _SCHEMAS = {
     "xwalk_subgroup_value_display_names": "subgroup_category string, subgroup_value string, subgroup_value_display_name string",
     "xwalk_student_programs": "program_name string, indicator_name string, is_active boolean, is_annual boolean, is_ever boolean",
     "xwalk_discipline_behaviors": "behavior_type string, severity_order int",
+    "xwalk_assessment_scores": "assessment_identifier string, namespace string, assessment_family string, original_score_name string, normalized_score_name string",
     "xwalk_discipline_actions": "discipline_action string, severity_order int, is_oss boolean, is_iss boolean, is_exp boolean, is_minor boolean",
     "xwalk_student_characteristics": "characteristic_descriptor string, indicator_name string",
 }
@@ -126,6 +135,7 @@ _ROWS = {
     "xwalk_subgroup_value_display_names": SUBGROUP_VALUE_NAMES,
     "xwalk_student_programs": STUDENT_PROGRAMS,
     "xwalk_discipline_behaviors": DISCIPLINE_BEHAVIORS,
+    "xwalk_assessment_scores": ASSESSMENT_SCORES,
     "xwalk_discipline_actions": DISCIPLINE_ACTIONS,
     "xwalk_student_characteristics": STUDENT_CHARACTERISTICS,
 }

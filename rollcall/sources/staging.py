@@ -58,6 +58,10 @@ GRADING_PERIODS = [
     ("Third Quarter", dt.date(2024, 1, 1), dt.date(2024, 1, 15)),
     ("Fourth Quarter", dt.date(2024, 1, 16), dt.date(2024, 1, 31)),
 ]
+# fixed values: assessment namespace, score names, performance levels
+ASSESSMENT_NAMESPACE = "uri://rollcall.example/assessment"
+SCORE_NAMES = ["Scale Score", "Raw Score", "Percentile"]
+PERFORMANCE_LEVELS = [("Proficient", "3"), ("Approaching", "2"), ("Below", "1")]
 # fixed values: races by c_custkey % 5 (index 4 = no race rows)
 RACES_BY_KEY = [["White"], ["Black - African American"], ["White", "Asian"], ["Asian"], []]
 
@@ -544,3 +548,73 @@ class Staging:
             F.col("home_school_id").cast("string").alias("school_id"),
             F.when(_mod("event_id", 5) != 0, F.col("behavior_type")).alias("link_behavior_type"),
         )
+
+    # ---- assessments (orders, lineitem) -------------------------------------
+    def _stg_ef3__assessments(self) -> DataFrame:
+        o = self("orders_home").select("tenant_code", "o_orderpriority").distinct()
+        return o.select(
+            "tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+            key("tenant_code", F.lit("ASMT"), "o_orderpriority").alias("k_assessment"),
+            F.col("o_orderpriority").alias("assessment_identifier"),
+            F.lit(ASSESSMENT_NAMESPACE).alias("namespace"),
+            F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Screener").otherwise("Benchmark")
+             .alias("assessment_family"),
+            F.concat(F.lit("Assessment "), F.col("o_orderpriority")).alias("assessment_title"),
+            F.lit("Mathematics").alias("academic_subject"))
+
+    def _stg_ef3__assessments__scores(self) -> DataFrame:
+        a = self("stg_ef3__assessments").select("tenant_code", "api_year", "k_assessment")
+        return a.select("*", F.explode(F.array(*[F.lit(n) for n in SCORE_NAMES])).alias("score_name"))
+
+    def _stg_ef3__assessments__performance_levels(self) -> DataFrame:
+        a = self("stg_ef3__assessments").select("tenant_code", "api_year", "k_assessment")
+        pl = F.explode(F.array(*[F.struct(F.lit(n).alias("performance_level_name"),
+                                          F.lit(v).alias("performance_level_value")) for n, v in PERFORMANCE_LEVELS]))
+        return a.select("*", pl.alias("p")).select("tenant_code", "api_year", "k_assessment", "p.*")
+
+    def _stg_ef3__assessments__grade_levels(self) -> DataFrame:
+        a = self("stg_ef3__assessments").select("tenant_code", "api_year", "k_assessment")
+        return a.select("*", F.explode(F.array(F.lit("Third grade"), F.lit("Fourth grade"))).alias("grade_level"))
+
+    def _stg_ef3__student_assessments(self) -> DataFrame:
+        o = self("orders_home")
+        return o.select(
+            "tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"), "school_year",
+            key("tenant_code", "o_orderkey").alias("k_student_assessment"),
+            key("tenant_code", F.lit("ASMT"), "o_orderpriority").alias("k_assessment"),
+            key("tenant_code", "o_custkey", "school_year").alias("k_student"),
+            key("tenant_code", "o_custkey").alias("k_student_xyear"),
+            F.col("o_orderkey").cast("string").alias("student_assessment_identifier"),
+            F.col("o_orderpriority").alias("assessment_identifier"),
+            F.lit(ASSESSMENT_NAMESPACE).alias("namespace"),
+            F.col("begin_date").alias("administration_date"),
+            F.when(_mod("o_orderkey", 2) == 0, "Third grade").otherwise("Fourth grade").alias("when_assessed_grade_level"))
+
+    def _stg_ef3__student_assessments__score_results(self) -> DataFrame:
+        li = self.t("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
+        o = self("orders_home").select("o_orderkey", "tenant_code", "o_orderpriority")
+        j = li.join(o, "o_orderkey")
+        name = F.element_at(F.array(*[F.lit(n) for n in SCORE_NAMES]), (_mod("l_linenumber", 3) + 1).cast("int"))
+        return j.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "o_orderkey").alias("k_student_assessment"),
+                        key("tenant_code", F.lit("ASMT"), "o_orderpriority").alias("k_assessment"),
+                        F.col("o_orderpriority").alias("assessment_identifier"),
+                        F.lit(ASSESSMENT_NAMESPACE).alias("namespace"),
+                        name.alias("score_name"),
+                        F.col("l_quantity").cast("int").cast("string").alias("score_result"))
+
+    def _stg_ef3__student_assessments__performance_levels(self) -> DataFrame:
+        o = self("orders_home")
+        level = F.when(F.col("o_orderstatus") == "F", "Proficient").when(F.col("o_orderstatus") == "O", "Approaching") \
+            .otherwise("Below")
+        pls = F.when(_mod("o_orderkey", 5) == 0,
+                     F.array(F.struct(F.lit("Proficiency").alias("n"), level.alias("r")),
+                             F.struct(F.lit("Scale Score").alias("n"), F.lit("Z").alias("r")))
+                     ).otherwise(F.array(F.struct(F.lit("Proficiency").alias("n"), level.alias("r"))))
+        x = o.select("*", F.explode(pls).alias("p"))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "o_orderkey").alias("k_student_assessment"),
+                        key("tenant_code", F.lit("ASMT"), "o_orderpriority").alias("k_assessment"),
+                        F.col("o_orderpriority").alias("assessment_identifier"),
+                        F.lit(ASSESSMENT_NAMESPACE).alias("namespace"),
+                        F.col("p.n").alias("performance_level_name"), F.col("p.r").alias("performance_level_result"))
