@@ -488,3 +488,111 @@ LEFT JOIN (SELECT * FROM o_long_results WHERE normalized_score_name = 'other' AN
   ON a.k_student_assessment = l.k_student_assessment
 WHERE a.k_student_xyear IN (SELECT k_student_xyear FROM o_dim_student)""",
     "stg_student_assessments", "o_dim_student", "o_long_results")
+
+# ---------------------------------------------------------------- sections and staff
+cte("stg_student_sections", f"""
+SELECT hs.tenant_code, 2024 AS school_year, {K('hs.tenant_code', 'o.o_custkey', '2024')} AS k_student,
+       {K('hp.tenant_code', 'l.l_partkey', "'S1'")} AS k_course_section,
+       DATE '2024-01-01' + CAST(l.l_orderkey % 10 AS INTEGER) AS begin_date,
+       CASE WHEN l.l_linestatus = 'F' THEN DATE '2024-01-01' + CAST(l.l_orderkey % 10 AS INTEGER) + 15 END AS end_date,
+       l.l_linenumber = 1 AS is_homeroom
+FROM lineitem l
+JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN home_school hs ON o.o_custkey % 10 = hs.home_school_id
+JOIN home_school hp ON l.l_partkey % 10 = hp.home_school_id""", "home_school")
+
+_ACTIVE_SEC = f"""CASE WHEN x.school_year = max(x.school_year) OVER (PARTITION BY x.tenant_code)
+                 AND (x.end_date IS NULL OR x.end_date >= {AS_OF}) AND x.begin_date <= {AS_OF}
+            THEN true ELSE false END"""
+
+cte("o_fct_student_section", f"""
+SELECT x.k_student, s.k_student_xyear, c.k_school, x.k_course_section, x.tenant_code, x.school_year, x.begin_date,
+       x.end_date, x.is_homeroom, {_ACTIVE_SEC} AS is_active_enrollment
+FROM stg_student_sections x
+JOIN o_dim_student s ON x.k_student = s.k_student
+JOIN o_dim_course_section c ON x.k_course_section = c.k_course_section""",
+    "stg_student_sections", "o_dim_student", "o_dim_course_section")
+
+cte("staff_home", """
+SELECT *, 'T' || CAST(c_custkey AS VARCHAR) AS staff_unique_id FROM customer_home WHERE c_custkey % 47 = 0""",
+    "customer_home")
+
+cte("stg_staff_emails", f"""
+SELECT tenant_code, {K('tenant_code', 'staff_unique_id')} AS k_staff, t AS email_type, e AS email_address
+FROM (SELECT tenant_code, staff_unique_id, 'Work' AS t,
+             lower(staff_unique_id) || '@school' || CAST(home_school_id AS VARCHAR) || '.edu' AS e FROM staff_home
+      UNION ALL SELECT tenant_code, staff_unique_id, 'Personal', lower(staff_unique_id) || '@gmail.com'
+      FROM staff_home WHERE c_custkey % 2 = 0
+      UNION ALL SELECT tenant_code, staff_unique_id, 'Work', lower(staff_unique_id) || ' at school'
+      FROM staff_home WHERE c_custkey % 3 = 0
+      UNION ALL SELECT tenant_code, staff_unique_id, 'Other', lower(staff_unique_id) || '@district.org'
+      FROM staff_home WHERE c_custkey % 5 = 0) u""", "staff_home")
+
+cte("o_staff_emails", """
+SELECT *, regexp_matches(email_address, '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]+') AS is_valid_email
+FROM stg_staff_emails""", "stg_staff_emails")
+
+cte("o_staff_official_emails", """
+SELECT tenant_code, k_staff, email_type, email_address FROM o_staff_emails
+WHERE is_valid_email AND email_type IN ('Work')
+  AND (lower(split_part(email_address, '@', 2)) NOT IN ('gmail.com', 'yahoo.com', 'hotmail.com')
+       OR split_part(email_address, '@', 2) IS NULL)
+QUALIFY row_number() OVER (PARTITION BY k_staff, email_address ORDER BY email_type ASC NULLS LAST) = 1""",
+    "o_staff_emails")
+
+cte("o_dim_staff", f"""
+SELECT {K('s.tenant_code', 's.staff_unique_id')} AS k_staff, s.tenant_code, s.staff_unique_id,
+       s.c_name AS first_name, CASE WHEN s.c_custkey % 3 = 0 THEN 'Lee' END AS middle_name,
+       upper(left(s.c_mktsegment, 1)) || lower(substr(s.c_mktsegment, 2)) AS last_name,
+       upper(left(s.c_mktsegment, 1)) || lower(substr(s.c_mktsegment, 2)) || ', ' || s.c_name
+         || CASE WHEN s.c_custkey % 3 = 0 THEN ' L' ELSE '' END AS display_name,
+       e.email_address, e.email_type, s.home_school_id AS school_id
+FROM staff_home s
+LEFT JOIN (SELECT * FROM o_staff_emails WHERE is_valid_email
+           QUALIFY row_number() OVER (PARTITION BY k_staff
+                                      ORDER BY (email_type = 'Work') DESC NULLS LAST, email_type ASC NULLS LAST) = 1) e
+  ON {K('s.tenant_code', 's.staff_unique_id')} = e.k_staff""", "staff_home", "o_staff_emails")
+
+cte("o_fct_staff_section", f"""
+SELECT x.k_staff, x.k_course_section, c.k_school, x.tenant_code, x.school_year, x.begin_date, x.end_date,
+       x.classroom_position, {_ACTIVE_SEC} AS is_active_enrollment
+FROM (SELECT s.tenant_code, 2024 AS school_year, {K('s.tenant_code', 's.staff_unique_id')} AS k_staff,
+             {K('p.tenant_code', 'p.p_partkey', "'S1'")} AS k_course_section, DATE '2024-01-01' AS begin_date,
+             CASE WHEN s.c_custkey % 5 = 0 THEN DATE '2024-01-20' END AS end_date,
+             'Teacher of Record' AS classroom_position
+      FROM staff_home s JOIN part_home p
+        ON s.home_school_id = p.home_school_id AND (s.c_custkey // 47) % 7 = p.p_partkey % 7) x
+JOIN o_dim_staff d ON x.k_staff = d.k_staff
+JOIN o_dim_course_section c ON x.k_course_section = c.k_course_section""",
+    "staff_home", "part_home", "o_dim_staff", "o_dim_course_section")
+
+cte("o_sections_per_enrollment", """
+SELECT e.tenant_code, e.k_school, e.k_student, e.school_year, e.entry_date, count(s.k_course_section) AS n_sections
+FROM o_fct_enrollment e
+LEFT JOIN o_fct_student_section s
+  ON e.k_student = s.k_student AND e.k_school = s.k_school
+ AND ((s.begin_date >= e.entry_date AND (e.exit_withdraw_date IS NULL OR s.begin_date <= e.exit_withdraw_date))
+      OR (s.end_date >= e.entry_date AND (e.exit_withdraw_date IS NULL OR s.end_date <= e.exit_withdraw_date)))
+GROUP BY 1, 2, 3, 4, 5""", "o_fct_enrollment", "o_fct_student_section")
+
+cte("o_dq_d18", """
+SELECT k_school, k_student, school_year, entry_date, n_sections FROM o_sections_per_enrollment WHERE n_sections = 0""",
+    "o_sections_per_enrollment")
+
+cte("o_dq_d22", """
+SELECT *, ((20000 * n_enrollments_without_sections + n_enrollments) // (2 * n_enrollments)) / 10000.0
+            AS p_enrollments_without_sections
+FROM (SELECT k_school, school_year, count(*) AS n_enrollments,
+             count_if(n_sections = 0) AS n_enrollments_without_sections
+      FROM o_sections_per_enrollment GROUP BY 1, 2) t
+WHERE n_enrollments_without_sections > 0""", "o_sections_per_enrollment")
+
+cte("o_dq_d23", """
+SELECT c.* FROM o_dim_course_section c
+WHERE c.k_course_section NOT IN (SELECT k_course_section FROM o_fct_staff_section)""",
+    "o_dim_course_section", "o_fct_staff_section")
+
+cte("o_dq_d24", """
+SELECT c.* FROM o_dim_course_section c
+WHERE c.k_course_section NOT IN (SELECT k_course_section FROM o_fct_student_section)""",
+    "o_dim_course_section", "o_fct_student_section")

@@ -81,3 +81,12 @@ final("ds_dim_assessment", "o_dim_assessment", bigint=("school_year",),
 final("ds_student_assessments_long_results", "o_long_results", bigint=("api_year",))
 final("ds_fct_student_assessment", "o_fct_student_assessment", bigint=("school_year",))
 final("q10_other_result_score", "o_q10", bigint=("school_year", "percentile"))
+final("ds_fct_student_section_association", "o_fct_student_section", bigint=("school_year",))
+final("ds_staff_official_emails", "o_staff_official_emails")
+final("ds_dim_staff", "o_dim_staff")
+final("ds_fct_staff_section_association", "o_fct_staff_section", bigint=("school_year",))
+final("ds_qc_sections_per_enrollment", "o_sections_per_enrollment", bigint=("school_year",))
+final("dq_d18_enrollments_without_overlapping_sections", "o_dq_d18", bigint=("school_year",))
+final("dq_d22_schools_with_enrollments_without_sections", "o_dq_d22", bigint=("school_year",))
+final("dq_d23_sections_without_staff", "o_dq_d23", bigint=("school_year", "available_credits"))
+final("dq_d24_sections_without_students", "o_dq_d24", bigint=("school_year", "available_credits"))

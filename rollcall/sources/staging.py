@@ -62,6 +62,8 @@ GRADING_PERIODS = [
 ASSESSMENT_NAMESPACE = "uri://rollcall.example/assessment"
 SCORE_NAMES = ["Scale Score", "Raw Score", "Percentile"]
 PERFORMANCE_LEVELS = [("Proficient", "3"), ("Approaching", "2"), ("Below", "1")]
+# fixed values: staff are customers whose key is a multiple of this
+STAFF_KEY_STEP = 47
 # fixed values: races by c_custkey % 5 (index 4 = no race rows)
 RACES_BY_KEY = [["White"], ["Black - African American"], ["White", "Asian"], ["Asian"], []]
 
@@ -618,3 +620,64 @@ class Staging:
                         F.col("o_orderpriority").alias("assessment_identifier"),
                         F.lit(ASSESSMENT_NAMESPACE).alias("namespace"),
                         F.col("p.n").alias("performance_level_name"), F.col("p.r").alias("performance_level_result"))
+
+    # ---- student sections (lineitem) -----------------------------------------
+    def _stg_ef3__student_section_associations(self) -> DataFrame:
+        li = self.t("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_linestatus")
+        o = self.t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+        hs = self("home_school")
+        j = (li.join(o, "l_orderkey")
+             .join(hs.select(F.col("home_school_id").alias("stu_school"), "tenant_code"),
+                   _mod("o_custkey", N_HOME_SCHOOLS) == F.col("stu_school"))
+             .join(hs.select(F.col("home_school_id").alias("part_school"), F.col("tenant_code").alias("part_tenant")),
+                   _mod("l_partkey", N_HOME_SCHOOLS) == F.col("part_school")))
+        begin = F.date_add(F.lit(CAL_START), _mod("l_orderkey", 10).cast("int"))
+        return j.select(
+            "tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+            key("tenant_code", "o_custkey", F.lit(SCHOOL_YEAR)).alias("k_student"),
+            key("part_tenant", "l_partkey", F.lit("S1")).alias("k_course_section"),
+            begin.alias("begin_date"),
+            F.when(F.col("l_linestatus") == "F", F.date_add(begin, 15)).alias("end_date"),
+            (F.col("l_linenumber") == 1).alias("is_homeroom"))
+
+    # ---- staff (customers whose key is a multiple of STAFF_KEY_STEP) ----------
+    def _staff_home(self) -> DataFrame:
+        c = self("customer_home").filter(_mod("c_custkey", STAFF_KEY_STEP) == 0)
+        return c.withColumn("staff_unique_id", F.concat(F.lit("T"), F.col("c_custkey").cast("string")))
+
+    def _stg_ef3__staffs(self) -> DataFrame:
+        c = self("staff_home")
+        return c.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "staff_unique_id").alias("k_staff"), "staff_unique_id",
+                        F.col("c_name").alias("first_name"), F.initcap("c_mktsegment").alias("last_name"),
+                        F.when(_mod("c_custkey", 3) == 0, F.lit("Lee")).alias("middle_name"),
+                        F.col("home_school_id").alias("school_id"))
+
+    def _stg_ef3__staffs__emails(self) -> DataFrame:
+        c = self("staff_home")
+        sid = F.lower(F.col("staff_unique_id"))
+        emails = F.filter(F.array(
+            F.struct(F.lit("Work").alias("t"),
+                     F.concat(sid, F.lit("@school"), F.col("home_school_id").cast("string"), F.lit(".edu")).alias("e")),
+            F.when(_mod("c_custkey", 2) == 0, F.struct(F.lit("Personal").alias("t"),
+                                                       F.concat(sid, F.lit("@gmail.com")).alias("e"))),
+            F.when(_mod("c_custkey", 3) == 0, F.struct(F.lit("Work").alias("t"), F.concat(sid, F.lit(" at school")).alias("e"))),
+            F.when(_mod("c_custkey", 5) == 0, F.struct(F.lit("Other").alias("t"),
+                                                       F.concat(sid, F.lit("@district.org")).alias("e"))),
+        ), lambda x: x.isNotNull())
+        x = c.select("*", F.explode(emails).alias("m"))
+        return x.select("tenant_code", key("tenant_code", "staff_unique_id").alias("k_staff"),
+                        F.col("m.t").alias("email_type"), F.col("m.e").alias("email_address"))
+
+    def _stg_ef3__staff_section_associations(self) -> DataFrame:
+        st = self("staff_home").select("tenant_code", "staff_unique_id", "home_school_id", "c_custkey")
+        p = self("part_home").select("p_partkey", F.col("home_school_id").alias("p_school"),
+                                     F.col("tenant_code").alias("p_tenant"))
+        j = st.join(p, (st.home_school_id == p.p_school)
+                    & (F.pmod(F.floor(F.col("c_custkey") / STAFF_KEY_STEP), F.lit(7)) == F.pmod("p_partkey", F.lit(7))))
+        return j.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+                        key("tenant_code", "staff_unique_id").alias("k_staff"),
+                        key("p_tenant", "p_partkey", F.lit("S1")).alias("k_course_section"),
+                        F.lit(CAL_START).alias("begin_date"),
+                        F.when(_mod("c_custkey", 5) == 0, F.lit(dt.date(2024, 1, 20))).alias("end_date"),
+                        F.lit("Teacher of Record").alias("classroom_position"))
