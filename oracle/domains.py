@@ -596,3 +596,71 @@ cte("o_dq_d24", """
 SELECT c.* FROM o_dim_course_section c
 WHERE c.k_course_section NOT IN (SELECT k_course_section FROM o_fct_student_section)""",
     "o_dim_course_section", "o_fct_student_section")
+
+# ---------------------------------------------------------------- contacts
+cte("contact_home", """
+SELECT c.*, r.role, r.role || CAST(c.c_custkey AS VARCHAR) AS contact_unique_id
+FROM customer_home c JOIN (VALUES ('P'), ('G')) r(role) ON r.role = 'P' OR c.c_custkey % 4 = 0""", "customer_home")
+
+cte("o_parent_wide_emails", f"""
+SELECT k_parent, tenant_code,
+       max(CASE WHEN n = 'home' THEN e END) AS home_email_address,
+       max(CASE WHEN n = 'work' THEN e END) AS work_email_address
+FROM (SELECT {K('tenant_code', 'contact_unique_id')} AS k_parent, tenant_code, x.n, u.e
+      FROM (SELECT *, 'Home' AS t, lower(contact_unique_id) || '@mail.example' AS e FROM contact_home
+            UNION ALL SELECT *, 'Work', lower(contact_unique_id) || '@work.example' FROM contact_home
+            WHERE c_custkey % 3 = 0
+            UNION ALL SELECT *, 'Other', lower(contact_unique_id) || '@other.example' FROM contact_home
+            WHERE c_custkey % 5 = 0) u
+      JOIN (VALUES ('Home', 'home'), ('Work', 'work')) x(o, n) ON u.t = x.o) v
+GROUP BY 1, 2""", "contact_home")
+
+cte("o_parent_wide_phones", f"""
+SELECT k_parent, tenant_code,
+       max(CASE WHEN n = 'home' THEN p END) AS home_phone_number,
+       max(CASE WHEN n = 'mobile' THEN p END) AS mobile_phone_number
+FROM (SELECT {K('tenant_code', 'contact_unique_id')} AS k_parent, tenant_code, x.n, u.p
+      FROM (SELECT *, 'Mobile' AS t, '555-0' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS p FROM contact_home
+            UNION ALL SELECT *, 'Home', '555-1' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') FROM contact_home
+            WHERE c_custkey % 2 = 0) u
+      JOIN (VALUES ('Mobile', 'mobile'), ('Home', 'home')) x(o, n) ON u.t = x.o) v
+GROUP BY 1, 2""", "contact_home")
+
+cte("o_dim_parent", f"""
+SELECT {K('c.tenant_code', 'c.contact_unique_id')} AS k_parent, c.tenant_code, 2024 AS school_year,
+       c.contact_unique_id AS parent_unique_id,
+       upper(left(c.c_mktsegment, 1)) || lower(substr(c.c_mktsegment, 2)) || ', '
+         || CASE WHEN c.role = 'P' THEN 'Parent' ELSE 'Guardian' END AS display_name,
+       CASE WHEN c.role = 'P' THEN 'Parent' ELSE 'Guardian' END AS first_name,
+       upper(left(c.c_mktsegment, 1)) || lower(substr(c.c_mktsegment, 2)) AS last_name,
+       p.home_phone_number, p.mobile_phone_number, e.home_email_address, e.work_email_address,
+       CAST(c.c_custkey AS VARCHAR) || ' ' || CASE WHEN c.c_custkey % 7 = 0 THEN 'Mailing' ELSE 'Home' END || ' Ave'
+         AS full_address
+FROM contact_home c
+LEFT JOIN o_parent_wide_phones p ON {K('c.tenant_code', 'c.contact_unique_id')} = p.k_parent
+LEFT JOIN o_parent_wide_emails e ON {K('c.tenant_code', 'c.contact_unique_id')} = e.k_parent""",
+    "contact_home", "o_parent_wide_phones", "o_parent_wide_emails")
+
+cte("o_fct_student_parent", f"""
+SELECT d.k_student, d.k_student_xyear, p.k_parent, a.tenant_code, a.school_year, a.contact_priority,
+       a.relation_type, a.is_emergency_contact, a.is_primary_contact
+FROM (SELECT c.tenant_code, y.sy AS school_year, {K('c.tenant_code', 'c.c_custkey', 'y.sy')} AS k_student,
+             {K('c.tenant_code', 'c.c_custkey')} AS k_student_xyear,
+             {K('c.tenant_code', 'c.contact_unique_id')} AS k_contact,
+             CASE WHEN c.role = 'P' THEN 1 ELSE 2 END AS contact_priority,
+             CASE WHEN c.role = 'P' THEN 'Parent' ELSE 'Guardian' END AS relation_type,
+             (c.role = 'P' OR c.c_custkey % 8 = 0) AS is_primary_contact, c.role = 'P' AS is_emergency_contact
+      FROM contact_home c CROSS JOIN (VALUES (2024), (2023)) y(sy)
+      WHERE y.sy = 2024 OR (c.c_custkey % 2 = 0 AND c.role = 'P')) a
+JOIN (SELECT k_student FROM o_dim_student WHERE is_latest_record) l ON a.k_student = l.k_student
+JOIN o_dim_student d ON a.k_student_xyear = d.k_student_xyear
+JOIN o_dim_parent p ON a.k_contact = p.k_parent""", "contact_home", "o_dim_student", "o_dim_parent")
+
+cte("o_dq_d14", """
+SELECT tenant_code, school_year, k_student, sum(CAST(is_primary_contact AS INTEGER)) AS n_primary_contacts
+FROM o_fct_student_parent GROUP BY 1, 2, 3 HAVING sum(CAST(is_primary_contact AS INTEGER)) > 1""",
+    "o_fct_student_parent")
+
+cte("o_dq_d21", """
+SELECT tenant_code, k_student_xyear, k_parent, count(DISTINCT school_year) AS n_school_years
+FROM o_fct_student_parent GROUP BY 1, 2, 3 HAVING count(DISTINCT school_year) > 1""", "o_fct_student_parent")

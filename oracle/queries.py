@@ -90,3 +90,8 @@ final("dq_d18_enrollments_without_overlapping_sections", "o_dq_d18", bigint=("sc
 final("dq_d22_schools_with_enrollments_without_sections", "o_dq_d22", bigint=("school_year",))
 final("dq_d23_sections_without_staff", "o_dq_d23", bigint=("school_year", "available_credits"))
 final("dq_d24_sections_without_students", "o_dq_d24", bigint=("school_year", "available_credits"))
+final("ds_parent_wide_emails", "o_parent_wide_emails")
+final("ds_dim_parent", "o_dim_parent", bigint=("school_year",))
+final("ds_fct_student_parent_association", "o_fct_student_parent", bigint=("school_year", "contact_priority"))
+final("dq_d14_students_with_multiple_primary_contacts", "o_dq_d14", bigint=("school_year", "n_primary_contacts"))
+final("dq_d21_parent_association_multiple_years", "o_dq_d21")

@@ -101,6 +101,10 @@ ASSESSMENT_SCORES = [
     (None, "uri://rollcall.example/assessment", None, "Proficiency", "performance_level"),
 ]
 
+# fixed values: contact e-mail and phone types -> column stems
+PARENT_EMAIL_TYPES = [("Home", "home"), ("Work", "work")]
+PARENT_PHONE_TYPES = [("Mobile", "mobile"), ("Home", "home")]
+
 # fixed values: student characteristic descriptors -> indicator column names
 STUDENT_CHARACTERISTICS = [
     ("Economic Disadvantaged", "is_economic_disadvantaged"),
@@ -119,6 +123,8 @@ _SCHEMAS = {
     "xwalk_subgroup_value_display_names": "subgroup_category string, subgroup_value string, subgroup_value_display_name string",
     "xwalk_student_programs": "program_name string, indicator_name string, is_active boolean, is_annual boolean, is_ever boolean",
     "xwalk_discipline_behaviors": "behavior_type string, severity_order int",
+    "xwalk_parent_email_types": "original_email_type string, normalized_email_type string",
+    "xwalk_parent_phone_number_types": "original_phone_number_type string, normalized_phone_number_type string",
     "xwalk_assessment_scores": "assessment_identifier string, namespace string, assessment_family string, original_score_name string, normalized_score_name string",
     "xwalk_discipline_actions": "discipline_action string, severity_order int, is_oss boolean, is_iss boolean, is_exp boolean, is_minor boolean",
     "xwalk_student_characteristics": "characteristic_descriptor string, indicator_name string",
@@ -135,6 +141,8 @@ _ROWS = {
     "xwalk_subgroup_value_display_names": SUBGROUP_VALUE_NAMES,
     "xwalk_student_programs": STUDENT_PROGRAMS,
     "xwalk_discipline_behaviors": DISCIPLINE_BEHAVIORS,
+    "xwalk_parent_email_types": PARENT_EMAIL_TYPES,
+    "xwalk_parent_phone_number_types": PARENT_PHONE_TYPES,
     "xwalk_assessment_scores": ASSESSMENT_SCORES,
     "xwalk_discipline_actions": DISCIPLINE_ACTIONS,
     "xwalk_student_characteristics": STUDENT_CHARACTERISTICS,

@@ -681,3 +681,66 @@ class Staging:
                         F.lit(CAL_START).alias("begin_date"),
                         F.when(_mod("c_custkey", 5) == 0, F.lit(dt.date(2024, 1, 20))).alias("end_date"),
                         F.lit("Teacher of Record").alias("classroom_position"))
+
+    # ---- contacts (customers) -------------------------------------------------
+    def _contact_home(self) -> DataFrame:
+        c = self("customer_home")
+        who = F.when(_mod("c_custkey", 4) == 0, F.array(F.lit("P"), F.lit("G"))).otherwise(F.array(F.lit("P")))
+        x = c.select("*", F.explode(who).alias("role"))
+        return x.withColumn("contact_unique_id", F.concat(F.col("role"), F.col("c_custkey").cast("string")))
+
+    def _stg_ef3__contacts(self) -> DataFrame:
+        c = self("contact_home")
+        return c.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "contact_unique_id").alias("k_contact"), "contact_unique_id",
+                        F.when(F.col("role") == "P", "Parent").otherwise("Guardian").alias("first_name"),
+                        F.initcap("c_mktsegment").alias("last_name"))
+
+    def _stg_ef3__contacts__emails(self) -> DataFrame:
+        c = self("contact_home")
+        cid = F.lower("contact_unique_id")
+        em = F.filter(F.array(
+            F.struct(F.lit("Home").alias("t"), F.concat(cid, F.lit("@mail.example")).alias("e")),
+            F.when(_mod("c_custkey", 3) == 0, F.struct(F.lit("Work").alias("t"),
+                                                       F.concat(cid, F.lit("@work.example")).alias("e"))),
+            F.when(_mod("c_custkey", 5) == 0, F.struct(F.lit("Other").alias("t"),
+                                                       F.concat(cid, F.lit("@other.example")).alias("e")))),
+            lambda x: x.isNotNull())
+        x = c.select("*", F.explode(em).alias("m"))
+        return x.select("tenant_code", key("tenant_code", "contact_unique_id").alias("k_contact"),
+                        F.col("m.t").alias("email_type"), F.col("m.e").alias("email_address"))
+
+    def _stg_ef3__contacts__telephones(self) -> DataFrame:
+        c = self("contact_home")
+        num = F.lpad(_mod("c_custkey", 10000).cast("string"), 4, "0")
+        ph = F.filter(F.array(
+            F.struct(F.lit("Mobile").alias("t"), F.concat(F.lit("555-0"), num).alias("n")),
+            F.when(_mod("c_custkey", 2) == 0, F.struct(F.lit("Home").alias("t"), F.concat(F.lit("555-1"), num).alias("n")))),
+            lambda x: x.isNotNull())
+        x = c.select("*", F.explode(ph).alias("m"))
+        return x.select("tenant_code", key("tenant_code", "contact_unique_id").alias("k_contact"),
+                        F.col("m.t").alias("phone_number_type"), F.col("m.n").alias("phone_number"))
+
+    def _stg_ef3__contacts__addresses(self) -> DataFrame:
+        c = self("contact_home")
+        ad = F.array(
+            F.struct(F.lit("Home").alias("t"), (_mod("c_custkey", 7) == 0).alias("d")),
+            F.struct(F.lit("Mailing").alias("t"), F.lit(False).alias("d")))
+        x = c.select("*", F.explode(ad).alias("m"))
+        return x.select(key("tenant_code", "contact_unique_id").alias("k_contact"), F.col("m.t").alias("address_type"),
+                        F.concat(F.col("c_custkey").cast("string"), F.lit(" "), F.col("m.t"), F.lit(" Ave")).alias("full_address"),
+                        F.col("m.d").alias("do_not_publish"))
+
+    def _stg_ef3__student_contact_associations(self) -> DataFrame:
+        c = self("contact_home")
+        years = F.when((_mod("c_custkey", 2) == 0) & (F.col("role") == "P"),
+                       F.array(F.lit(SCHOOL_YEAR), F.lit(PRIOR_YEAR))).otherwise(F.array(F.lit(SCHOOL_YEAR)))
+        x = c.select("*", F.explode(years).alias("school_year"))
+        return x.select("tenant_code", "school_year",
+                        key("tenant_code", "c_custkey", "school_year").alias("k_student"),
+                        key("tenant_code", "c_custkey").alias("k_student_xyear"),
+                        key("tenant_code", "contact_unique_id").alias("k_contact"),
+                        F.when(F.col("role") == "P", 1).otherwise(2).alias("contact_priority"),
+                        F.when(F.col("role") == "P", "Parent").otherwise("Guardian").alias("relation_type"),
+                        ((F.col("role") == "P") | (_mod("c_custkey", 8) == 0)).alias("is_primary_contact"),
+                        (F.col("role") == "P").alias("is_emergency_contact"))
