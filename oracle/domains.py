@@ -664,3 +664,85 @@ FROM o_fct_student_parent GROUP BY 1, 2, 3 HAVING sum(CAST(is_primary_contact AS
 cte("o_dq_d21", """
 SELECT tenant_code, k_student_xyear, k_parent, count(DISTINCT school_year) AS n_school_years
 FROM o_fct_student_parent GROUP BY 1, 2, 3 HAVING count(DISTINCT school_year) > 1""", "o_fct_student_parent")
+
+# ---------------------------------------------------------------- other names, indicators
+cte("o_other_names", f"""
+SELECT tenant_code, api_year, k_student, k_student_xyear,
+       min(CASE WHEN t = 'Alias' THEN fn END) AS alias_first_name,
+       min(CASE WHEN t = 'Alias' THEN ln END) AS alias_last_surname,
+       min(CASE WHEN t = 'Previous Legal Name' THEN fn END) AS previous_legal_name_first_name,
+       min(CASE WHEN t = 'Previous Legal Name' THEN ln END) AS previous_legal_name_last_surname
+FROM (SELECT c.tenant_code, 2024 AS api_year, {K('c.tenant_code', 'c.c_custkey', '2024')} AS k_student,
+             {K('c.tenant_code', 'c.c_custkey')} AS k_student_xyear, x.t,
+             substring(c.c_name, 1, 3) || '-' || left(x.t, 1) AS fn, upper(c.c_mktsegment) AS ln
+      FROM customer_home c JOIN (VALUES ('Alias'), ('Previous Legal Name')) x(t)
+        ON x.t = 'Alias' OR c.c_custkey % 3 = 0) o
+GROUP BY 1, 2, 3, 4""", "customer_home")
+
+_TRUE = "('yes', 'y', 'true', 't', '1', '1.0')"
+_FALSE = "('no', 'n', 'false', 'f', '0', '0.0')"
+
+cte("o_student_indicators", f"""
+SELECT tenant_code, api_year, k_student, k_student_xyear, ed_org_id,
+       CASE WHEN lower(has_iep) IN {_TRUE} THEN true WHEN lower(has_iep) IN {_FALSE} THEN false END AS has_iep,
+       TRY_CAST(reading_level AS INTEGER) AS reading_level
+FROM (SELECT c.tenant_code, 2024 AS api_year, {K('c.tenant_code', 'c.c_custkey', '2024')} AS k_student,
+             {K('c.tenant_code', 'c.c_custkey')} AS k_student_xyear, CAST(c.home_school_id AS VARCHAR) AS ed_org_id,
+             max(CASE WHEN i.n = 'has_iep' THEN i.v END) AS has_iep,
+             max(CASE WHEN i.n = 'reading_level' THEN i.v END) AS reading_level
+      FROM customer_home c
+      JOIN (SELECT c_custkey AS k, 'has_iep' AS n,
+                   CASE c_custkey % 4 WHEN 0 THEN 'Y' WHEN 1 THEN 'false' WHEN 2 THEN 'maybe' ELSE '1.0' END AS v
+            FROM customer_home
+            UNION ALL
+            SELECT c_custkey, 'reading_level',
+                   CASE WHEN c_custkey % 9 = 0 THEN 'high' ELSE CAST(c_custkey % 6 AS VARCHAR) END
+            FROM customer_home) i ON c.c_custkey = i.k
+      GROUP BY 1, 2, 3, 4, 5) w""", "customer_home")
+
+# ---------------------------------------------------------------- class periods, cohorts
+
+
+def _repair(t: str) -> str:
+    h = f"TRY_CAST(left({t}, 2) AS INTEGER)"
+    return f"(CASE WHEN {h} BETWEEN 1 AND 6 THEN lpad(CAST({h} + 12 AS VARCHAR), 2, '0') || substr({t}, 3) ELSE {t} END)"
+
+
+cte("o_class_periods_raw", f"""
+SELECT s.tenant_code, 2024 AS school_year, s.k_school, {K('s.tenant_code', 's.school_id', 'p.n')} AS k_class_period,
+       p.n AS class_period_name, p.n = 'Period 1' AS is_official_attendance_period,
+       CASE WHEN s.school_id % 5 = 0 THEN 2 ELSE 1 END AS n_meeting_times,
+       {_repair('p.a')} AS start_time, {_repair('p.b')} AS end_time
+FROM stg_schools s
+JOIN o_dim_school d ON s.k_school = d.k_school
+CROSS JOIN (VALUES ('Period 1', '08:00:00', '08:50:00'), ('Period 2', '11:30:00', '12:20:00'),
+                   ('Period 3', '01:00:00', '01:50:00'), ('Period 4', '12:30:00', '01:15:00')) p(n, a, b)""",
+    "stg_schools", "o_dim_school")
+
+cte("o_dim_class_period", """
+SELECT *, date_diff('minute', CAST('1970-01-01 ' || start_time AS TIMESTAMP),
+                    CASE WHEN CAST('1970-01-01 ' || start_time AS TIMESTAMP) > CAST('1970-01-01 ' || end_time AS TIMESTAMP)
+                         THEN CAST('1970-01-01 ' || end_time AS TIMESTAMP) + INTERVAL 12 HOUR
+                         ELSE CAST('1970-01-01 ' || end_time AS TIMESTAMP) END) AS class_duration
+FROM o_class_periods_raw""", "o_class_periods_raw")
+
+cte("o_dim_cohort", f"""
+SELECT {K('s.tenant_code', 's.school_id', 'c.id')} AS k_cohort, s.k_lea, s.k_school, s.tenant_code, 2024 AS school_year,
+       c.id AS cohort_id, c.id || ' at school ' || CAST(s.school_id AS VARCHAR) AS cohort_description,
+       'Graduating Class' AS cohort_type, 'School' AS cohort_scope
+FROM stg_schools s CROSS JOIN (VALUES ('Class of 2030'), ('Class of 2031')) c(id)""", "stg_schools")
+
+cte("o_fct_cohort", f"""
+SELECT a.k_student, s.k_student_xyear, a.k_cohort, a.tenant_code, a.school_year, a.cohort_begin_date,
+       a.cohort_end_date,
+       CASE WHEN a.school_year = max(a.school_year) OVER (PARTITION BY a.tenant_code)
+                 AND a.cohort_begin_date <= {AS_OF}
+                 AND (a.cohort_end_date IS NULL OR a.cohort_end_date >= {AS_OF}) THEN true ELSE false END AS is_active
+FROM (SELECT tenant_code, 2024 AS school_year, {K('tenant_code', 'c_custkey', '2024')} AS k_student,
+             {K('tenant_code', 'home_school_id', "CASE WHEN c_custkey % 2 = 0 THEN 'Class of 2030' ELSE 'Class of 2031' END")}
+               AS k_cohort,
+             DATE '2024-01-01' + CAST(c_custkey % 20 AS INTEGER) AS cohort_begin_date,
+             CASE WHEN c_custkey % 3 = 0 THEN DATE '2024-01-26' END AS cohort_end_date
+      FROM customer_home) a
+JOIN o_dim_student s ON a.k_student = s.k_student
+JOIN o_dim_cohort c ON a.k_cohort = c.k_cohort""", "customer_home", "o_dim_student", "o_dim_cohort")

@@ -95,3 +95,8 @@ final("ds_dim_parent", "o_dim_parent", bigint=("school_year",))
 final("ds_fct_student_parent_association", "o_fct_student_parent", bigint=("school_year", "contact_priority"))
 final("dq_d14_students_with_multiple_primary_contacts", "o_dq_d14", bigint=("school_year", "n_primary_contacts"))
 final("dq_d21_parent_association_multiple_years", "o_dq_d21")
+final("ds_student__other_names", "o_other_names", bigint=("api_year",))
+final("ds_student_indicators", "o_student_indicators", bigint=("api_year", "reading_level"))
+final("ds_dim_class_period", "o_dim_class_period", bigint=("school_year", "n_meeting_times", "class_duration"))
+final("ds_dim_cohort", "o_dim_cohort", bigint=("school_year",))
+final("ds_fct_student_cohort_association", "o_fct_cohort", bigint=("school_year",))

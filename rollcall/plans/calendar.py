@@ -82,3 +82,45 @@ def dim_session(wh) -> DataFrame:
     return s.join(wh("dim_school").select("k_school"), "k_school").select(
         "k_session", "k_school", "tenant_code", "school_year", "session_name", "academic_term",
         "session_begin_date", "session_end_date", "total_instructional_days")
+
+
+_MEETING_TIMES = "array<struct<startTime:string,endTime:string>>"
+
+
+@dataset("dim_class_period", grain=("k_class_period",))
+def dim_class_period(wh) -> DataFrame:
+    """Class periods at known schools (J1): first meeting time from the JSON
+    list (F22), 12-hour times repaired (F14), minutes between (F15), the JSON
+    passthrough dropped (P3)."""
+    from ..functions.columns import minutes_between, repair_time
+    p = wh("stg_ef3__class_periods")
+    mt = F.from_json("v_meeting_times", _MEETING_TIMES)
+    p = (p.join(wh("dim_school").select("k_school"), "k_school")
+         .withColumn("n_meeting_times", F.size(mt))
+         .withColumn("start_time", repair_time(F.get(mt, 0)["startTime"]))
+         .withColumn("end_time", repair_time(F.get(mt, 0)["endTime"])))
+    p = p.withColumn("class_duration", minutes_between("start_time", "end_time"))
+    return p.drop("v_meeting_times")
+
+
+@dataset("dim_cohort", grain=("k_cohort",))
+def dim_cohort(wh) -> DataFrame:
+    """P1 projection of cohorts."""
+    return wh("stg_ef3__cohorts").select("k_cohort", "k_lea", "k_school", "tenant_code", "school_year", "cohort_id",
+                                         "cohort_description", "cohort_type", "cohort_scope")
+
+
+@dataset("fct_student_cohort_association", grain=("k_student", "k_cohort", "cohort_begin_date"))
+def fct_student_cohort_association(wh) -> DataFrame:
+    """Student x cohort of known students and cohorts (J1), active flag."""
+    from ..functions.columns import iff
+    from ..operators.windows import flag_partition_max
+    today = wh.config.today()
+    s = (wh("stg_ef3__student_cohort_associations").join(wh("dim_student").select("k_student", "k_student_xyear"),
+                                                           "k_student")
+         .join(wh("dim_cohort").select("k_cohort"), "k_cohort"))
+    s = flag_partition_max(s, ["tenant_code"], "school_year", "__latest", few_partitions=True)
+    active = F.col("__latest") & (F.col("cohort_begin_date") <= today) & (
+        F.col("cohort_end_date").isNull() | (F.col("cohort_end_date") >= today))
+    return s.select("k_student", "k_student_xyear", "k_cohort", "tenant_code", "school_year", "cohort_begin_date",
+                    "cohort_end_date", iff(active, True, False).alias("is_active"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import display_name, race_label
 from ..operators.dedupe import deduplicate
 from ..operators.joins import seed
-from ..operators.reshape import crosswalk_values, pivot_flags
+from ..operators.reshape import crosswalk_values, pivot_flags, pivot_values
 from ..operators.sets import sorted_array
 from .registry import dataset
 
@@ -107,3 +107,28 @@ def dim_student(wh) -> DataFrame:
                     "ed_org_id", "gender", "lep_code", "has_hispanic_latino_ethnicity", "race_ethnicity",
                     "race_array", "grade_level", "grade_level_integer", *flag_cols,
                     *[n for n, _ in cfg.intersection_groups], "is_latest_record")
+
+
+@dataset("bld_student__other_names", grain=("k_student",))
+def student_other_names(wh) -> DataFrame:
+    """X4 + S11: ``{type}_{part}`` per other-name type seen in the data (bounded probe)."""
+    from ..operators.reshape import pivot_2d
+    o = wh("stg_ef3__students__other_names")
+    types = crosswalk_values(o, "other_name_type")
+    return pivot_2d(o, ["tenant_code", "api_year", "k_student", "k_student_xyear"], "other_name_type", types,
+                    ["first_name", "last_surname"])
+
+
+@dataset("bld_student_indicators", grain=("k_student", "ed_org_id"))
+def student_indicators(wh) -> DataFrame:
+    """Raw indicator values pivoted by their dimension name, then
+    typed by the crosswalk (booleans recoded, numbers try-cast)."""
+    from ..operators.reshape import cast_by_type
+    xw = seed(wh("xwalk_student_indicators"))
+    ind = wh("stg_ef3__stu_ed_org__indicators")
+    j = ind.join(xw, ind.indicator_name == xw.original_indicator_name)
+    names = crosswalk_values(xw, "dim_stu_name")
+    wide = pivot_values(j, ["tenant_code", "api_year", "k_student", "k_student_xyear", "ed_org_id"], "dim_stu_name",
+                        names, "indicator_value", agg="max")
+    types = {r[0]: r[1] for r in xw.select("dim_stu_name", "type").distinct().limit(5001).collect()}
+    return cast_by_type(wide, types)

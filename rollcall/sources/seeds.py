@@ -105,6 +105,12 @@ ASSESSMENT_SCORES = [
 PARENT_EMAIL_TYPES = [("Home", "home"), ("Work", "work")]
 PARENT_PHONE_TYPES = [("Mobile", "mobile"), ("Home", "home")]
 
+# fixed values: student indicators -> dimension column and type
+STUDENT_INDICATORS = [
+    ("Has IEP", "has_iep", "boolean"),
+    ("Reading Level", "reading_level", "int"),
+]
+
 # fixed values: student characteristic descriptors -> indicator column names
 STUDENT_CHARACTERISTICS = [
     ("Economic Disadvantaged", "is_economic_disadvantaged"),
@@ -123,6 +129,7 @@ _SCHEMAS = {
     "xwalk_subgroup_value_display_names": "subgroup_category string, subgroup_value string, subgroup_value_display_name string",
     "xwalk_student_programs": "program_name string, indicator_name string, is_active boolean, is_annual boolean, is_ever boolean",
     "xwalk_discipline_behaviors": "behavior_type string, severity_order int",
+    "xwalk_student_indicators": "original_indicator_name string, dim_stu_name string, type string",
     "xwalk_parent_email_types": "original_email_type string, normalized_email_type string",
     "xwalk_parent_phone_number_types": "original_phone_number_type string, normalized_phone_number_type string",
     "xwalk_assessment_scores": "assessment_identifier string, namespace string, assessment_family string, original_score_name string, normalized_score_name string",
@@ -141,6 +148,7 @@ _ROWS = {
     "xwalk_subgroup_value_display_names": SUBGROUP_VALUE_NAMES,
     "xwalk_student_programs": STUDENT_PROGRAMS,
     "xwalk_discipline_behaviors": DISCIPLINE_BEHAVIORS,
+    "xwalk_student_indicators": STUDENT_INDICATORS,
     "xwalk_parent_email_types": PARENT_EMAIL_TYPES,
     "xwalk_parent_phone_number_types": PARENT_PHONE_TYPES,
     "xwalk_assessment_scores": ASSESSMENT_SCORES,

@@ -64,6 +64,13 @@ SCORE_NAMES = ["Scale Score", "Raw Score", "Percentile"]
 PERFORMANCE_LEVELS = [("Proficient", "3"), ("Approaching", "2"), ("Below", "1")]
 # fixed values: staff are customers whose key is a multiple of this
 STAFF_KEY_STEP = 47
+# fixed values: class periods (name, start, end) with 12-hour clock entries as sent by sources
+CLASS_PERIODS = [
+    ("Period 1", "08:00:00", "08:50:00"),
+    ("Period 2", "11:30:00", "12:20:00"),
+    ("Period 3", "01:00:00", "01:50:00"),
+    ("Period 4", "12:30:00", "01:15:00"),
+]
 # fixed values: races by c_custkey % 5 (index 4 = no race rows)
 RACES_BY_KEY = [["White"], ["Black - African American"], ["White", "Asian"], ["Asian"], []]
 
@@ -744,3 +751,64 @@ class Staging:
                         F.when(F.col("role") == "P", "Parent").otherwise("Guardian").alias("relation_type"),
                         ((F.col("role") == "P") | (_mod("c_custkey", 8) == 0)).alias("is_primary_contact"),
                         (F.col("role") == "P").alias("is_emergency_contact"))
+
+    # ---- other names, indicators (customers) -----------------------------------
+    def _stg_ef3__students__other_names(self) -> DataFrame:
+        c = self("customer_home")
+        types = F.when(_mod("c_custkey", 3) == 0, F.array(F.lit("Alias"), F.lit("Previous Legal Name"))).otherwise(
+            F.array(F.lit("Alias")))
+        x = c.select("*", F.explode(types).alias("other_name_type"))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "c_custkey", F.lit(SCHOOL_YEAR)).alias("k_student"),
+                        key("tenant_code", "c_custkey").alias("k_student_xyear"), "other_name_type",
+                        F.concat(F.substring("c_name", 1, 3), F.lit("-"), F.left("other_name_type", F.lit(1))).alias("first_name"),
+                        F.upper("c_mktsegment").alias("last_surname"))
+
+    def _stg_ef3__stu_ed_org__indicators(self) -> DataFrame:
+        c = self("customer_home")
+        ind = F.filter(F.array(
+            F.struct(F.lit("Has IEP").alias("n"), F.when(_mod("c_custkey", 4) == 0, "Y").when(
+                _mod("c_custkey", 4) == 1, "false").when(_mod("c_custkey", 4) == 2, "maybe").otherwise("1.0").alias("v")),
+            F.struct(F.lit("Reading Level").alias("n"),
+                     F.when(_mod("c_custkey", 9) == 0, F.lit("high")).otherwise(_mod("c_custkey", 6).cast("string")).alias("v")),
+            F.when(_mod("c_custkey", 10) == 0, F.struct(F.lit("Unmapped Indicator").alias("n"), F.lit("x").alias("v")))),
+            lambda x: x.isNotNull())
+        x = c.select("*", F.explode(ind).alias("i"))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "c_custkey", F.lit(SCHOOL_YEAR)).alias("k_student"),
+                        key("tenant_code", "c_custkey").alias("k_student_xyear"),
+                        F.col("home_school_id").cast("string").alias("ed_org_id"),
+                        F.col("i.n").alias("indicator_name"), F.col("i.v").alias("indicator_value"))
+
+    # ---- class periods, cohorts (supplier) --------------------------------------
+    def _stg_ef3__class_periods(self) -> DataFrame:
+        sch = self("stg_ef3__schools").select("tenant_code", "school_id", "k_school")
+        per = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(a).alias("a"), F.lit(b).alias("b"))
+                                  for n, a, b in CLASS_PERIODS]))
+        x = sch.select("*", per.alias("p"))
+        meeting = F.concat(F.lit('[{"startTime": "'), F.col("p.a"), F.lit('", "endTime": "'), F.col("p.b"), F.lit('"}'),
+                           F.when(_mod("school_id", 5) == 0, F.lit(', {"startTime": "14:00:00", "endTime": "14:30:00"}'))
+                           .otherwise(F.lit("")), F.lit("]"))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"), "k_school",
+                        key("tenant_code", "school_id", F.col("p.n")).alias("k_class_period"),
+                        F.col("p.n").alias("class_period_name"),
+                        (F.col("p.n") == "Period 1").alias("is_official_attendance_period"),
+                        meeting.alias("v_meeting_times"))
+
+    def _stg_ef3__cohorts(self) -> DataFrame:
+        sch = self("stg_ef3__schools").select("tenant_code", "school_id", "k_school", "k_lea")
+        x = sch.select("*", F.explode(F.array(F.lit("Class of 2030"), F.lit("Class of 2031"))).alias("cohort_id"))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"), "k_school", "k_lea",
+                        key("tenant_code", "school_id", "cohort_id").alias("k_cohort"), "cohort_id",
+                        F.concat(F.col("cohort_id"), F.lit(" at school "), F.col("school_id").cast("string"))
+                        .alias("cohort_description"),
+                        F.lit("Graduating Class").alias("cohort_type"), F.lit("School").alias("cohort_scope"))
+
+    def _stg_ef3__student_cohort_associations(self) -> DataFrame:
+        c = self("customer_home")
+        cohort = F.when(_mod("c_custkey", 2) == 0, F.lit("Class of 2030")).otherwise(F.lit("Class of 2031"))
+        return c.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+                        key("tenant_code", "c_custkey", F.lit(SCHOOL_YEAR)).alias("k_student"),
+                        key("tenant_code", "home_school_id", cohort).alias("k_cohort"),
+                        F.date_add(F.lit(CAL_START), _mod("c_custkey", 20).cast("int")).alias("cohort_begin_date"),
+                        F.when(_mod("c_custkey", 3) == 0, F.date_add(F.lit(CAL_START), 25)).alias("cohort_end_date"))
