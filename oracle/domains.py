@@ -746,3 +746,84 @@ FROM (SELECT tenant_code, 2024 AS school_year, {K('tenant_code', 'c_custkey', '2
       FROM customer_home) a
 JOIN o_dim_student s ON a.k_student = s.k_student
 JOIN o_dim_cohort c ON a.k_cohort = c.k_cohort""", "customer_home", "o_dim_student", "o_dim_cohort")
+
+# ---------------------------------------------------------------- academic records
+cte("academic_home", """
+SELECT c.*, y.sy AS school_year, t.term AS academic_term
+FROM customer_home c
+JOIN (VALUES (2024), (2023), (2022)) y(sy) ON y.sy = 2024 OR (y.sy = 2023 AND c.c_custkey % 2 = 0)
+                                           OR (y.sy = 2022 AND c.c_custkey % 3 = 0)
+CROSS JOIN (VALUES ('Fall'), ('Spring')) t(term)""", "customer_home")
+
+cte("stg_academic_records", f"""
+SELECT tenant_code, school_year AS api_year, school_year, academic_term,
+       {K('tenant_code', 'c_custkey', 'school_year', 'academic_term')} AS k_student_academic_record,
+       {K('tenant_code', 'c_custkey')} AS k_student_xyear,
+       CASE WHEN c_custkey % 4 <> 0 THEN {K('tenant_code', 'home_school_id')} END AS k_school,
+       CASE WHEN c_custkey % 2 = 1 THEN {K('tenant_code', "'district'", 'c_custkey % 3')} END AS k_lea,
+       (c_custkey % 400) / 100.0 AS cumulative_gpa,
+       CASE WHEN c_custkey % 5 <> 0 THEN (c_custkey % 300) / 100.0 END AS session_gpa,
+       c_custkey % 30 AS cumulative_earned_credits, c_custkey
+FROM academic_home""", "academic_home")
+
+cte("o_fct_academic_record", """
+SELECT r.k_student_academic_record, s.k_student, r.k_student_xyear, coalesce(r.k_lea, d.k_lea) AS k_lea, r.k_school,
+       r.tenant_code, r.school_year, r.academic_term, r.cumulative_earned_credits
+FROM stg_academic_records r
+LEFT JOIN o_dim_school d ON r.k_school = d.k_school
+LEFT JOIN o_dim_student s ON r.k_student_xyear = s.k_student_xyear AND r.school_year = s.school_year""",
+    "stg_academic_records", "o_dim_school", "o_dim_student")
+
+cte("o_combine_gpas", """
+SELECT tenant_code, api_year, k_student_academic_record, 'Cumulative, weighted' AS gpa_type,
+       (c_custkey % 450) / 100.0 AS gpa_value, true AS is_cumulative, 4.5 AS max_gpa_value
+FROM stg_academic_records WHERE school_year = 2024
+UNION ALL
+SELECT tenant_code, api_year, k_student_academic_record, 'Cumulative, unknown weighting', cumulative_gpa, true,
+       CAST(NULL AS DOUBLE)
+FROM stg_academic_records
+UNION ALL
+SELECT tenant_code, api_year, k_student_academic_record, 'Non-cumulative, unknown weighting', session_gpa, false,
+       CAST(NULL AS DOUBLE)
+FROM stg_academic_records""", "stg_academic_records")
+
+cte("o_fct_gpa", """
+SELECT g.k_student_academic_record, g.gpa_type, g.gpa_value, g.is_cumulative, g.max_gpa_value, r.k_student,
+       r.k_student_xyear, r.k_lea, r.k_school, r.tenant_code, r.school_year, r.academic_term
+FROM o_combine_gpas g JOIN o_fct_academic_record r ON g.k_student_academic_record = r.k_student_academic_record""",
+    "o_combine_gpas", "o_fct_academic_record")
+
+cte("o_diplomas", """
+SELECT a.k_student_academic_record, 'Regular Diploma' AS diploma_type,
+       make_date(a.school_year, 6, 1) AS diploma_award_date, 'Diploma ' || a.academic_term AS diploma_description,
+       r.tenant_code, r.k_student, r.k_student_xyear, r.k_lea, r.k_school, r.school_year, r.academic_term
+FROM stg_academic_records a
+JOIN o_fct_academic_record r ON a.k_student_academic_record = r.k_student_academic_record
+WHERE a.c_custkey % 6 = 0 AND (a.academic_term = 'Spring' OR a.c_custkey % 12 = 0)""",
+    "stg_academic_records", "o_fct_academic_record")
+
+cte("o_fct_diploma", """
+SELECT * EXCLUDE (academic_term) FROM o_diplomas
+QUALIFY row_number() OVER (PARTITION BY k_student, k_student_xyear, school_year, k_lea, k_school, diploma_type,
+                                        diploma_award_date
+                           ORDER BY academic_term ASC NULLS LAST, k_student_academic_record ASC NULLS LAST) = 1""",
+    "o_diplomas")
+
+cte("o_dq_d27", """
+SELECT * FROM (
+  SELECT *,
+         count(*) OVER (PARTITION BY k_student, k_student_xyear, school_year, k_lea, k_school, diploma_type,
+                                     diploma_award_date) AS n_duplicates,
+         row_number() OVER (PARTITION BY k_student, k_student_xyear, school_year, k_lea, k_school, diploma_type,
+                                         diploma_award_date
+                            ORDER BY academic_term ASC NULLS LAST, k_student_academic_record ASC NULLS LAST) = 1
+           AS is_kept_in_fct_student_diploma
+  FROM o_diplomas) t
+WHERE n_duplicates > 1""", "o_diplomas")
+
+cte("o_q8", """
+SELECT g.k_student_academic_record, g.k_student_xyear, g.school_year, g.academic_term, g.gpa_type, g.gpa_value,
+       s.k_student AS latest_k_student, s.display_name, s.grade_level
+FROM o_fct_gpa g
+LEFT JOIN (SELECT * FROM o_dim_student WHERE is_latest_record) s ON g.k_student_xyear = s.k_student_xyear""",
+    "o_fct_gpa", "o_dim_student")

@@ -100,3 +100,9 @@ final("ds_student_indicators", "o_student_indicators", bigint=("api_year", "read
 final("ds_dim_class_period", "o_dim_class_period", bigint=("school_year", "n_meeting_times", "class_duration"))
 final("ds_dim_cohort", "o_dim_cohort", bigint=("school_year",))
 final("ds_fct_student_cohort_association", "o_fct_cohort", bigint=("school_year",))
+final("ds_fct_student_academic_record", "o_fct_academic_record", bigint=("school_year", "cumulative_earned_credits"))
+final("ds_combine_gpas", "o_combine_gpas", bigint=("api_year",), double=("max_gpa_value",))
+final("ds_fct_student_gpa", "o_fct_gpa", bigint=("school_year",), double=("max_gpa_value",))
+final("ds_fct_student_diploma", "o_fct_diploma", bigint=("school_year",))
+final("dq_d27_diploma_record_duplicates", "o_dq_d27", bigint=("school_year",))
+final("q8_gpa_with_latest_student", "o_q8", bigint=("school_year",))

@@ -108,6 +108,15 @@ def q10_other_result_score(wh) -> DataFrame:
                     F.try_element_at("v_other_results", F.lit("Percentile")).try_cast("int").alias("percentile"))
 
 
+def q8_gpa_with_latest_student(wh) -> DataFrame:
+    """Q8: GPA rows joined to the student's latest dimension row."""
+    g = wh.table("fct_student_gpa").select("k_student_academic_record", "k_student_xyear", "school_year",
+                                           "academic_term", "gpa_type", "gpa_value")
+    s = (wh.table("dim_student").filter(F.col("is_latest_record"))
+         .select("k_student_xyear", F.col("k_student").alias("latest_k_student"), "display_name", "grade_level"))
+    return g.join(s, "k_student_xyear", "left")
+
+
 QUERIES = {
     "q1_students_by_subgroup": q1_students_by_subgroup,
     "q2_attendance_rate_by_subgroup": q2_attendance_rate_by_subgroup,
@@ -115,6 +124,7 @@ QUERIES = {
     "q4_enrolled_in_february": q4_enrolled_in_february,
     "q5_discipline_counts": q5_discipline_counts,
     "q6_suspension_rate": q6_suspension_rate,
+    "q8_gpa_with_latest_student": q8_gpa_with_latest_student,
     "q9_program_enrollments_with_services": q9_program_enrollments_with_services,
     "q10_other_result_score": q10_other_result_score,
 }

@@ -123,6 +123,6 @@ def load_all() -> dict[str, Dataset]:
     """Import every plan module so their datasets register."""
     from . import (  # noqa: F401
         assessments, attendance, calendar, checks, contacts, discipline, enrollment, finance, grades, orgs,
-        programs, sections, students, subgroups,
+        programs, records, sections, students, subgroups,
     )
     return DATASETS

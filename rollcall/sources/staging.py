@@ -812,3 +812,41 @@ class Staging:
                         key("tenant_code", "home_school_id", cohort).alias("k_cohort"),
                         F.date_add(F.lit(CAL_START), _mod("c_custkey", 20).cast("int")).alias("cohort_begin_date"),
                         F.when(_mod("c_custkey", 3) == 0, F.date_add(F.lit(CAL_START), 25)).alias("cohort_end_date"))
+
+    # ---- academic records, GPAs, diplomas (customers) ----------------------------
+    def _academic_home(self) -> DataFrame:
+        c = self("customer_home")
+        years = F.filter(F.array(F.lit(SCHOOL_YEAR), F.when(_mod("c_custkey", 2) == 0, F.lit(PRIOR_YEAR)),
+                                 F.when(_mod("c_custkey", 3) == 0, F.lit(PRIOR_YEAR - 1))), lambda x: x.isNotNull())
+        x = c.select("*", F.explode(years).alias("school_year"))
+        return x.select("*", F.explode(F.array(F.lit("Fall"), F.lit("Spring"))).alias("academic_term"))
+
+    def _stg_ef3__student_academic_records(self) -> DataFrame:
+        a = self("academic_home")
+        return a.select(
+            "tenant_code", F.col("school_year").alias("api_year"), "school_year", "academic_term",
+            key("tenant_code", "c_custkey", "school_year", "academic_term").alias("k_student_academic_record"),
+            key("tenant_code", "c_custkey").alias("k_student_xyear"),
+            F.when(_mod("c_custkey", 4) != 0, key("tenant_code", "home_school_id")).alias("k_school"),
+            F.when(_mod("c_custkey", 2) == 1, key("tenant_code", F.lit("district"), _mod("c_custkey", 3))).alias("k_lea"),
+            (_mod("c_custkey", 400) / 100.0).alias("cumulative_gpa"),
+            F.when(_mod("c_custkey", 5) != 0, _mod("c_custkey", 300) / 100.0).alias("session_gpa"),
+            _mod("c_custkey", 30).alias("cumulative_earned_credits"))
+
+    def _stg_ef3__student_academic_records__gpas(self) -> DataFrame:
+        a = self("academic_home").filter(F.col("school_year") == SCHOOL_YEAR)
+        return a.select(
+            "tenant_code", F.col("school_year").alias("api_year"),
+            key("tenant_code", "c_custkey", "school_year", "academic_term").alias("k_student_academic_record"),
+            F.lit("Cumulative, weighted").alias("gpa_type"), (_mod("c_custkey", 450) / 100.0).alias("gpa_value"),
+            F.lit(True).alias("is_cumulative"), F.lit(4.5).alias("max_gpa_value"))
+
+    def _stg_ef3__student_academic_records__diplomas(self) -> DataFrame:
+        a = self("academic_home").filter(
+            (_mod("c_custkey", 6) == 0) & ((F.col("academic_term") == "Spring") | (_mod("c_custkey", 12) == 0)))
+        return a.select(
+            "tenant_code",
+            key("tenant_code", "c_custkey", "school_year", "academic_term").alias("k_student_academic_record"),
+            F.lit("Regular Diploma").alias("diploma_type"),
+            F.make_date("school_year", F.lit(6), F.lit(1)).alias("diploma_award_date"),
+            F.concat(F.lit("Diploma "), F.col("academic_term")).alias("diploma_description"))
