@@ -86,7 +86,7 @@ SELECT nt.tenant_code, 2024 AS api_year, {K('nt.tenant_code', 's.s_suppkey')} AS
 FROM supplier s JOIN nation_tenant nt ON s.s_nationkey = nt.n_nationkey""", "nation_tenant")
 
 cte("home_school", """
-SELECT s.s_suppkey AS home_school_id, nt.tenant_code
+SELECT s.s_suppkey AS home_school_id, nt.tenant_code, s.s_nationkey AS home_nationkey
 FROM supplier s JOIN nation_tenant nt ON s.s_nationkey = nt.n_nationkey
 WHERE s.s_suppkey BETWEEN 0 AND 9""", "nation_tenant")
 
@@ -133,7 +133,7 @@ FROM stg_schools CROSS JOIN (VALUES ('Year Round', DATE '2024-01-01', DATE '2024
 
 cte("customer_home", """
 SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment, c.c_custkey % 10 AS home_school_id,
-       h.tenant_code
+       h.tenant_code, h.home_nationkey
 FROM customer c JOIN home_school h ON c.c_custkey % 10 = h.home_school_id""", "home_school")
 
 cte("stg_students", f"""

@@ -827,3 +827,46 @@ SELECT g.k_student_academic_record, g.k_student_xyear, g.school_year, g.academic
 FROM o_fct_gpa g
 LEFT JOIN (SELECT * FROM o_dim_student WHERE is_latest_record) s ON g.k_student_xyear = s.k_student_xyear""",
     "o_fct_gpa", "o_dim_student")
+
+# ---------------------------------------------------------------- staff school assignments
+cte("o_fct_staff_school", f"""
+SELECT {K('tenant_code', 'school_year', 'begin_date', 'k_staff', 'k_school', 'program_assignment',
+          'staff_classification')} AS k_staff_school_association, *,
+       CASE WHEN school_year = max(school_year) OVER (PARTITION BY tenant_code)
+                 AND (end_date IS NULL OR end_date >= {AS_OF}) AND begin_date <= {AS_OF}
+            THEN true ELSE false END AS is_active_assignment
+FROM (
+  SELECT st.k_staff, d.k_lea, d.k_school, c.k_school_calendar, ss.tenant_code, ss.school_year, ss.program_assignment,
+         CASE WHEN sa.k IS NOT NULL THEN 'Teacher' WHEN la.k IS NOT NULL THEN 'Staff' END AS position_title,
+         CASE WHEN sa.k IS NOT NULL THEN sa.begin_date WHEN la.k IS NOT NULL THEN DATE '2023-08-01' END AS begin_date,
+         CASE WHEN sa.k IS NOT NULL THEN sa.end_date END AS end_date,
+         CASE WHEN sa.k IS NOT NULL THEN 1.0 WHEN la.k IS NOT NULL THEN 0.5 END AS full_time_equivalency,
+         CASE WHEN sa.k IS NOT NULL THEN 1 WHEN la.k IS NOT NULL THEN 2 END AS order_of_assignment,
+         CASE WHEN sa.k IS NOT NULL THEN 'Teacher' WHEN la.k IS NOT NULL THEN 'Instructional Staff' END AS staff_classification
+  FROM (SELECT h.tenant_code, 2024 AS school_year, {K('h.tenant_code', 'h.staff_unique_id')} AS k_staff,
+               {K('h.tenant_code', 'h.home_school_id')} AS k_school,
+               CASE WHEN h.c_custkey % 3 <> 0 THEN {K('h.tenant_code', 'h.home_school_id', '2024', "'main'")} END
+                 AS k_school_calendar, p.prog AS program_assignment, h.home_nationkey
+        FROM staff_home h JOIN (VALUES ('Regular Education'), ('Special Education')) p(prog)
+          ON p.prog = 'Regular Education' OR h.c_custkey % 2 = 0) ss
+  JOIN o_dim_school d ON ss.k_school = d.k_school
+  JOIN o_dim_staff st ON ss.k_staff = st.k_staff
+  LEFT JOIN (SELECT {K('tenant_code', 'staff_unique_id')} AS k, {K('tenant_code', 'home_nationkey')} AS k_lea
+             FROM staff_home) la ON ss.k_staff = la.k AND d.k_lea = la.k_lea
+  LEFT JOIN (SELECT {K('tenant_code', 'staff_unique_id')} AS k, {K('tenant_code', 'home_school_id')} AS k_school,
+                    DATE '2023-08-15' + CAST(c_custkey % 10 AS INTEGER) AS begin_date,
+                    CASE WHEN c_custkey % 5 = 0 THEN DATE '2024-01-20' END AS end_date
+             FROM staff_home WHERE c_custkey % 4 <> 0) sa ON ss.k_staff = sa.k AND d.k_school = sa.k_school
+  LEFT JOIN o_dim_school_calendar c ON ss.k_school_calendar = c.k_school_calendar
+) t""", "staff_home", "o_dim_school", "o_dim_staff", "o_dim_school_calendar")
+
+cte("o_q7", """
+SELECT st.staff_unique_id, st.email_address, st.display_name, d.school_id, d.school_name, a.position_title,
+       a.staff_classification, a.begin_date, a.end_date
+FROM (SELECT * FROM o_fct_staff_school WHERE is_active_assignment
+      QUALIFY row_number() OVER (PARTITION BY k_staff
+                                 ORDER BY end_date DESC NULLS FIRST, begin_date DESC NULLS FIRST,
+                                          order_of_assignment ASC NULLS LAST, k_school ASC NULLS LAST,
+                                          program_assignment ASC NULLS LAST) = 1) a
+JOIN o_dim_staff st ON a.k_staff = st.k_staff
+JOIN o_dim_school d ON a.k_school = d.k_school""", "o_fct_staff_school", "o_dim_staff", "o_dim_school")

@@ -108,6 +108,21 @@ def q10_other_result_score(wh) -> DataFrame:
                     F.try_element_at("v_other_results", F.lit("Percentile")).try_cast("int").alias("percentile"))
 
 
+def q7_latest_staff_assignment(wh) -> DataFrame:
+    """Q7: each active staff member's most recent school assignment (W1) with
+    school and e-mail (J1)."""
+    from ..operators.dedupe import deduplicate
+    a = wh.table("fct_staff_school_association").filter(F.col("is_active_assignment"))
+    a = deduplicate(a, ["k_staff"], [F.col("end_date").desc_nulls_first(), F.col("begin_date").desc_nulls_first(),
+                                     F.col("order_of_assignment").asc_nulls_last(), F.col("k_school").asc_nulls_last(),
+                                     F.col("program_assignment").asc_nulls_last()])
+    st = wh.table("dim_staff").select("k_staff", "staff_unique_id", "email_address", "display_name")
+    sc = wh.table("dim_school").select("k_school", "school_id", "school_name")
+    return a.join(st, "k_staff").join(sc, "k_school").select(
+        "staff_unique_id", "email_address", "display_name", "school_id", "school_name", "position_title",
+        "staff_classification", "begin_date", "end_date")
+
+
 def q8_gpa_with_latest_student(wh) -> DataFrame:
     """Q8: GPA rows joined to the student's latest dimension row."""
     g = wh.table("fct_student_gpa").select("k_student_academic_record", "k_student_xyear", "school_year",
@@ -124,6 +139,7 @@ QUERIES = {
     "q4_enrolled_in_february": q4_enrolled_in_february,
     "q5_discipline_counts": q5_discipline_counts,
     "q6_suspension_rate": q6_suspension_rate,
+    "q7_latest_staff_assignment": q7_latest_staff_assignment,
     "q8_gpa_with_latest_student": q8_gpa_with_latest_student,
     "q9_program_enrollments_with_services": q9_program_enrollments_with_services,
     "q10_other_result_score": q10_other_result_score,

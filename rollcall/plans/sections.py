@@ -125,3 +125,39 @@ def sections_without_staff(wh) -> DataFrame:
 def sections_without_students(wh) -> DataFrame:
     return wh.table("dim_course_section").join(
         wh.table("fct_student_section_association").select("k_course_section"), "k_course_section", "left_anti")
+
+
+@dataset("fct_staff_school_association", grain=("k_staff_school_association",))
+def fct_staff_school_association(wh) -> DataFrame:
+    """Staff at known schools (J1) with their assignment: the school-level
+    assignment is preferred over the district-level one (J12 coalesce); a
+    surrogate key (F1); active flag per tenant's latest year (W7 P18)."""
+    from ..functions.keys import surrogate_key
+    ss = wh("stg_ef3__staff_school_associations")
+    sch = wh("dim_school").select("k_school", "k_lea")
+    stf = wh("dim_staff").select("k_staff")
+    cal = wh("dim_school_calendar").select(F.col("k_school_calendar").alias("__cal"))
+    a = wh("stg_ef3__staff_education_organization_assignment_associations")
+    cols = ["position_title", "begin_date", "end_date", "full_time_equivalency", "order_of_assignment",
+            "staff_classification"]
+    lea = a.filter(F.col("ed_org_type") == "LocalEducationAgency").select(
+        F.col("k_staff").alias("__l_staff"), F.col("school_year").alias("__l_year"), F.col("k_lea").alias("__l_lea"),
+        *[F.col(c).alias(f"__l_{c}") for c in cols])
+    sca = a.filter(F.col("ed_org_type") == "School").select(
+        F.col("k_staff").alias("__s_staff"), F.col("school_year").alias("__s_year"),
+        F.col("k_school").alias("__s_school"), *[F.col(c).alias(f"__s_{c}") for c in cols])
+    j = ss.join(sch, "k_school").join(stf, "k_staff")
+    j = j.join(lea, (j.k_staff == lea.__l_staff) & (j.school_year == lea.__l_year) & (j.k_lea == lea.__l_lea), "left")
+    j = j.join(sca, (j.k_staff == sca.__s_staff) & (j.school_year == sca.__s_year) & (j.k_school == sca.__s_school),
+               "left")
+    j = j.join(cal, j.k_school_calendar == cal.__cal, "left")
+    j = j.select("k_staff", "k_lea", "k_school", F.col("__cal").alias("k_school_calendar"), "tenant_code",
+                 "school_year", "program_assignment",
+                 *[F.coalesce(f"__s_{c}", f"__l_{c}").alias(c) for c in cols])
+    j = j.withColumn("k_staff_school_association", surrogate_key(
+        "tenant_code", "school_year", "begin_date", "k_staff", "k_school", "program_assignment", "staff_classification"))
+    j = flag_partition_max(j, ["tenant_code"], "school_year", "__latest", few_partitions=True)
+    today = wh.config.today()
+    active = F.col("__latest") & (F.col("end_date").isNull() | (F.col("end_date") >= today)) & (
+        F.col("begin_date") <= today)
+    return j.withColumn("is_active_assignment", iff(active, True, False)).drop("__latest")

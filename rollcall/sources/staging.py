@@ -151,7 +151,7 @@ class Staging:
              .filter(F.col("s_suppkey").between(0, N_HOME_SCHOOLS - 1)))
         nt = self("nation_tenant").select(F.col("n_nationkey").alias("s_nationkey"), "tenant_code")
         return F.broadcast(s.join(F.broadcast(nt), "s_nationkey").select(
-            F.col("s_suppkey").alias("home_school_id"), "tenant_code"))
+            F.col("s_suppkey").alias("home_school_id"), "tenant_code", F.col("s_nationkey").alias("home_nationkey")))
 
     # ---- calendars and sessions ------------------------------------------
     def _stg_ef3__calendars(self) -> DataFrame:
@@ -850,3 +850,34 @@ class Staging:
             F.lit("Regular Diploma").alias("diploma_type"),
             F.make_date("school_year", F.lit(6), F.lit(1)).alias("diploma_award_date"),
             F.concat(F.lit("Diploma "), F.col("academic_term")).alias("diploma_description"))
+
+    # ---- staff school assignments ------------------------------------------------
+    def _stg_ef3__staff_school_associations(self) -> DataFrame:
+        st = self("staff_home")
+        progs = F.when(_mod("c_custkey", 2) == 0, F.array(F.lit("Regular Education"), F.lit("Special Education"))) \
+            .otherwise(F.array(F.lit("Regular Education")))
+        x = st.select("*", F.explode(progs).alias("program_assignment"))
+        cal = key("tenant_code", "home_school_id", F.lit(SCHOOL_YEAR), F.lit("main"))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+                        key("tenant_code", "staff_unique_id").alias("k_staff"),
+                        key("tenant_code", "home_school_id").alias("k_school"),
+                        F.when(_mod("c_custkey", 3) != 0, cal).alias("k_school_calendar"), "program_assignment")
+
+    def _stg_ef3__staff_education_organization_assignment_associations(self) -> DataFrame:
+        st = self("staff_home")
+        school = st.filter(_mod("c_custkey", 4) != 0).select(
+            "tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"), key("tenant_code", "staff_unique_id").alias("k_staff"),
+            F.lit("School").alias("ed_org_type"), key("tenant_code", "home_school_id").alias("k_school"),
+            F.lit(None).cast("string").alias("k_lea"), F.lit("Teacher").alias("position_title"),
+            F.date_add(F.lit(dt.date(2023, 8, 15)), _mod("c_custkey", 10).cast("int")).alias("begin_date"),
+            F.when(_mod("c_custkey", 5) == 0, F.lit(dt.date(2024, 1, 20))).alias("end_date"),
+            F.lit(1.0).alias("full_time_equivalency"), F.lit(1).alias("order_of_assignment"),
+            F.lit("Teacher").alias("staff_classification"))
+        lea = st.select(
+            "tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"), key("tenant_code", "staff_unique_id").alias("k_staff"),
+            F.lit("LocalEducationAgency").alias("ed_org_type"), F.lit(None).cast("string").alias("k_school"),
+            key("tenant_code", "home_nationkey").alias("k_lea"), F.lit("Staff").alias("position_title"),
+            F.lit(dt.date(2023, 8, 1)).alias("begin_date"), F.lit(None).cast("date").alias("end_date"),
+            F.lit(0.5).alias("full_time_equivalency"), F.lit(2).alias("order_of_assignment"),
+            F.lit("Instructional Staff").alias("staff_classification"))
+        return school.unionByName(lea)
