@@ -870,3 +870,48 @@ FROM (SELECT * FROM o_fct_staff_school WHERE is_active_assignment
                                           program_assignment ASC NULLS LAST) = 1) a
 JOIN o_dim_staff st ON a.k_staff = st.k_staff
 JOIN o_dim_school d ON a.k_school = d.k_school""", "o_fct_staff_school", "o_dim_staff", "o_dim_school")
+
+# ---------------------------------------------------------------- course extras
+cte("o_course_char_long", f"""
+SELECT DISTINCT tenant_code, k_course_section, ch AS course_level_characteristic FROM (
+  SELECT tenant_code, {K('tenant_code', 'p_partkey', "'S1'")} AS k_course_section,
+         CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 9 = 0 THEN 'Dual Credit'
+              WHEN p_partkey % 4 = 0 THEN 'Honors' END AS ch
+  FROM part_home
+  UNION ALL
+  SELECT tenant_code, {K('tenant_code', 'p_partkey', "'S1'")}, CASE WHEN p_size > 40 THEN 'Honors' END
+  FROM part_home) t
+WHERE ch IS NOT NULL""", "part_home")
+
+cte("o_course_char_wide", """
+SELECT k_course_section, list_sort(list(course_level_characteristic)) AS course_level_characteristics,
+       bool_or(coalesce(course_level_characteristic = 'AP', false)) AS is_ap,
+       bool_or(coalesce(course_level_characteristic = 'Dual Credit', false)) AS is_dual_credit,
+       bool_or(coalesce(course_level_characteristic = 'Honors', false)) AS is_honors
+FROM o_course_char_long GROUP BY 1""", "o_course_char_long")
+
+cte("o_course_subject", f"""
+SELECT {K('p.tenant_code', 'p.p_partkey')} AS k_course, s.subjects AS academic_subjects,
+       coalesce(CASE WHEN len(s.subjects) = 1 THEN s.subjects[1] WHEN len(s.subjects) > 1 THEN 'Multiple' END,
+                upper(left(p.p_type, 1)) || lower(substr(p.p_type, 2))) AS academic_subject
+FROM part_home p
+LEFT JOIN (SELECT k, list_sort(list(subj)) AS subjects FROM (
+             SELECT {K('tenant_code', 'p_partkey')} AS k, upper(left(p_type, 1)) || lower(substr(p_type, 2)) AS subj
+             FROM part_home WHERE p_partkey % 5 = 0 OR p_partkey % 7 <> 0
+             UNION ALL
+             SELECT {K('tenant_code', 'p_partkey')}, 'Science' FROM part_home WHERE p_partkey % 5 = 0) u
+           GROUP BY 1) s ON {K('p.tenant_code', 'p.p_partkey')} = s.k""", "part_home")
+
+cte("o_wide_ids_course", f"""
+SELECT tenant_code, 2024 AS api_year, {K('tenant_code', 'p_partkey')} AS k_course,
+       p_name AS lea_course_code, 'S' || CAST(p_partkey % 100 AS VARCHAR) AS sced_course_code
+FROM part_home""", "part_home")
+
+cte("o_brg_section_program", f"""
+SELECT c.k_course_section, p.k_program, b.tenant_code
+FROM (SELECT tenant_code, {K('tenant_code', 'p_partkey', "'S1'")} AS k_course_section,
+             {K('tenant_code', "(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW', '6-UNKNOWN'])"
+                "[CAST(p_partkey % 6 AS INTEGER) + 1]")} AS k_program
+      FROM part_home) b
+JOIN o_dim_course_section c ON b.k_course_section = c.k_course_section
+JOIN o_dim_program p ON b.k_program = p.k_program""", "part_home", "o_dim_course_section", "o_dim_program")

@@ -109,3 +109,8 @@ final("q8_gpa_with_latest_student", "o_q8", bigint=("school_year",))
 final("ds_fct_staff_school_association", "o_fct_staff_school", bigint=("school_year", "order_of_assignment"),
       double=("full_time_equivalency",))
 final("q7_latest_staff_assignment", "o_q7")
+final("ds_course_char__combined_long", "o_course_char_long")
+final("ds_course_char__combined_wide", "o_course_char_wide", lists=("course_level_characteristics",))
+final("ds_course_subject", "o_course_subject", lists=("academic_subjects",))
+final("ds_wide_ids_course", "o_wide_ids_course", bigint=("api_year",))
+final("ds_brg_course_section_program", "o_brg_section_program")

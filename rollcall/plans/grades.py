@@ -56,3 +56,68 @@ def fct_student_grades(wh) -> DataFrame:
     return j.select("k_student", "k_course_section", "k_school", "k_grading_period", "grade_type", "tenant_code",
                     "school_year", "letter_grade_earned", "numeric_grade_earned", "unweighted_gpa_points",
                     "exclude_from_gpa", "is_dorf", "grade_sort_index")
+
+
+_CHARS = "array<struct<courseLevelCharacteristicDescriptor:string>>"
+
+
+@dataset("bld_course_char__combined_long", grain=("k_course_section", "course_level_characteristic"))
+def course_char_combined_long(wh) -> DataFrame:
+    """Characteristics from the section and its course (JSON
+    lists flattened with ``explode_outer``), stacked and made distinct."""
+    from ..functions.columns import descriptor_short
+    sec = wh("stg_ef3__sections_chars").select(
+        "tenant_code", "k_course_section",
+        F.explode_outer(F.from_json("v_course_level_characteristics", _CHARS)).alias("c"))
+    crs = wh("stg_ef3__courses_chars").select(
+        "tenant_code", "k_course_section", F.explode_outer(F.from_json("v_level_characteristics", _CHARS)).alias("c"))
+    u = sec.unionByName(crs).select(
+        "tenant_code", "k_course_section",
+        descriptor_short(F.col("c.courseLevelCharacteristicDescriptor")).alias("course_level_characteristic"))
+    return u.filter(F.col("course_level_characteristic").isNotNull()).distinct()
+
+
+@dataset("bld_course_char__combined_wide", grain=("k_course_section",))
+def course_char_combined_wide(wh) -> DataFrame:
+    """Sorted characteristic list plus one flag per crosswalk indicator."""
+    from ..operators.reshape import pivot_flags
+    from ..operators.sets import sorted_array
+    long = wh("bld_course_char__combined_long")
+    xw = seed(wh("xwalk_course_level_characteristics"))
+    pairs = [(r[0], r[1]) for r in xw.orderBy("indicator_name").limit(5001).collect()]
+    arr = long.groupBy("k_course_section").agg(sorted_array("course_level_characteristic")
+                                                .alias("course_level_characteristics"))
+    flags = pivot_flags(long, ["k_course_section"], "course_level_characteristic", pairs)
+    return arr.join(flags, "k_course_section")
+
+
+@dataset("bld_course_subject", grain=("k_course",))
+def course_subject(wh) -> DataFrame:
+    """The course's single subject, 'Multiple', or the legacy column."""
+    from ..functions.columns import single_or_multiple
+    from ..operators.sets import sorted_array
+    subj = (wh("stg_ef3__courses__academic_subjects").groupBy("k_course")
+            .agg(sorted_array("academic_subject").alias("academic_subjects")))
+    c = wh("stg_ef3__courses").select("k_course", "academic_subject")
+    j = c.join(subj, "k_course", "left")
+    return j.select("k_course", "academic_subjects",
+                    F.coalesce(single_or_multiple("academic_subjects"), F.col("academic_subject")).alias("academic_subject"))
+
+
+@dataset("bld_wide_ids_course", grain=("tenant_code", "api_year", "k_course"))
+def wide_ids_course(wh) -> DataFrame:
+    """Course identification codes pivoted to ``{id_name}_course_code``."""
+    from ..operators.reshape import crosswalk_values, pivot_values
+    xw = seed(wh("xwalk_id_types_course"))
+    ids = wh("stg_ef3__courses__identification_codes").join(xw, "id_system")
+    return pivot_values(ids, ["tenant_code", "api_year", "k_course"], "id_name", crosswalk_values(xw, "id_name"),
+                        "id_code", agg="min", suffix="_course_code")
+
+
+@dataset("brg_course_section_program", grain=("k_course_section", "k_program"))
+def brg_course_section_program(wh) -> DataFrame:
+    """Section <-> program pairs where both exist."""
+    b = wh("stg_ef3__sections__programs")
+    return (b.join(wh("dim_course_section").select("k_course_section"), "k_course_section")
+            .join(wh("dim_program").select("k_program"), "k_program")
+            .select("k_course_section", "k_program", "tenant_code"))

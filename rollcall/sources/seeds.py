@@ -111,6 +111,12 @@ STUDENT_INDICATORS = [
     ("Reading Level", "reading_level", "int"),
 ]
 
+# fixed values: course level characteristics -> indicator columns
+COURSE_LEVEL_CHARACTERISTICS = [("Honors", "is_honors"), ("Dual Credit", "is_dual_credit"), ("AP", "is_ap")]
+
+# fixed values: course identification systems -> column stems
+ID_TYPES_COURSE = [("LEA course code", "lea"), ("SCED course code", "sced")]
+
 # fixed values: student characteristic descriptors -> indicator column names
 STUDENT_CHARACTERISTICS = [
     ("Economic Disadvantaged", "is_economic_disadvantaged"),
@@ -129,6 +135,8 @@ _SCHEMAS = {
     "xwalk_subgroup_value_display_names": "subgroup_category string, subgroup_value string, subgroup_value_display_name string",
     "xwalk_student_programs": "program_name string, indicator_name string, is_active boolean, is_annual boolean, is_ever boolean",
     "xwalk_discipline_behaviors": "behavior_type string, severity_order int",
+    "xwalk_course_level_characteristics": "characteristic_descriptor string, indicator_name string",
+    "xwalk_id_types_course": "id_system string, id_name string",
     "xwalk_student_indicators": "original_indicator_name string, dim_stu_name string, type string",
     "xwalk_parent_email_types": "original_email_type string, normalized_email_type string",
     "xwalk_parent_phone_number_types": "original_phone_number_type string, normalized_phone_number_type string",
@@ -148,6 +156,8 @@ _ROWS = {
     "xwalk_subgroup_value_display_names": SUBGROUP_VALUE_NAMES,
     "xwalk_student_programs": STUDENT_PROGRAMS,
     "xwalk_discipline_behaviors": DISCIPLINE_BEHAVIORS,
+    "xwalk_course_level_characteristics": COURSE_LEVEL_CHARACTERISTICS,
+    "xwalk_id_types_course": ID_TYPES_COURSE,
     "xwalk_student_indicators": STUDENT_INDICATORS,
     "xwalk_parent_email_types": PARENT_EMAIL_TYPES,
     "xwalk_parent_phone_number_types": PARENT_PHONE_TYPES,

@@ -71,6 +71,8 @@ CLASS_PERIODS = [
     ("Period 3", "01:00:00", "01:50:00"),
     ("Period 4", "12:30:00", "01:15:00"),
 ]
+# fixed values: descriptor URI prefix of course level characteristics
+CHAR_URI = "uri://rollcall.example/CourseLevelCharacteristicDescriptor#"
 # fixed values: races by c_custkey % 5 (index 4 = no race rows)
 RACES_BY_KEY = [["White"], ["Black - African American"], ["White", "Asian"], ["Asian"], []]
 
@@ -881,3 +883,49 @@ class Staging:
             F.lit(0.5).alias("full_time_equivalency"), F.lit(2).alias("order_of_assignment"),
             F.lit("Instructional Staff").alias("staff_classification"))
         return school.unionByName(lea)
+
+    # ---- course characteristics, subjects, ids, section programs (part) -------
+    def _course_chars_json(self, col) -> Column:
+        return F.concat(F.lit('[{"courseLevelCharacteristicDescriptor": "' + CHAR_URI), col, F.lit('"}]'))
+
+    def _stg_ef3__courses_chars(self) -> DataFrame:
+        p = self("part_home")
+        js = F.when(F.col("p_size") > 40, self._course_chars_json(F.lit("Honors"))).otherwise(F.lit("[]"))
+        return p.select(key("tenant_code", "p_partkey").alias("k_course"),
+                        key("tenant_code", "p_partkey", F.lit("S1")).alias("k_course_section"),
+                        "tenant_code", js.alias("v_level_characteristics"))
+
+    def _stg_ef3__sections_chars(self) -> DataFrame:
+        p = self("part_home")
+        js = (F.when(_mod("p_partkey", 13) == 0, F.lit(None).cast("string"))
+              .when(_mod("p_partkey", 9) == 0, self._course_chars_json(F.lit("Dual Credit")))
+              .when(_mod("p_partkey", 4) == 0, self._course_chars_json(F.lit("Honors")))
+              .otherwise(F.lit("[]")))
+        return p.select(key("tenant_code", "p_partkey", F.lit("S1")).alias("k_course_section"),
+                        key("tenant_code", "p_partkey").alias("k_course"),
+                        "tenant_code", js.alias("v_course_level_characteristics"))
+
+    def _stg_ef3__courses__academic_subjects(self) -> DataFrame:
+        p = self("part_home")
+        subj = F.when(_mod("p_partkey", 5) == 0, F.array(F.initcap("p_type"), F.lit("Science"))).when(
+            _mod("p_partkey", 7) == 0, F.array().cast("array<string>")).otherwise(F.array(F.initcap("p_type")))
+        return p.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "p_partkey").alias("k_course"), F.explode(subj).alias("academic_subject"))
+
+    def _stg_ef3__courses__identification_codes(self) -> DataFrame:
+        p = self("part_home")
+        ids = F.array(F.struct(F.lit("LEA course code").alias("s"), F.col("p_name").alias("c")),
+                      F.struct(F.lit("SCED course code").alias("s"),
+                               F.concat(F.lit("S"), _mod("p_partkey", 100).cast("string")).alias("c")),
+                      F.struct(F.lit("Other").alias("s"), F.col("p_brand").alias("c")))
+        x = p.select("*", F.explode(ids).alias("i"))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "p_partkey").alias("k_course"),
+                        F.col("i.s").alias("id_system"), F.col("i.c").alias("id_code"))
+
+    def _stg_ef3__sections__programs(self) -> DataFrame:
+        p = self("part_home")
+        prios = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "6-UNKNOWN"]
+        prio = F.element_at(F.array(*[F.lit(x) for x in prios]), (_mod("p_partkey", 6) + 1).cast("int"))
+        return p.select("tenant_code", key("tenant_code", "p_partkey", F.lit("S1")).alias("k_course_section"),
+                        key("tenant_code", prio).alias("k_program"))
