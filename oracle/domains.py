@@ -915,3 +915,92 @@ FROM (SELECT tenant_code, {K('tenant_code', 'p_partkey', "'S1'")} AS k_course_se
       FROM part_home) b
 JOIN o_dim_course_section c ON b.k_course_section = c.k_course_section
 JOIN o_dim_program p ON b.k_program = p.k_program""", "part_home", "o_dim_course_section", "o_dim_program")
+
+# ---------------------------------------------------------------- educator preparation
+cte("candidate_home", """
+SELECT *, 'C' || CAST(c_custkey AS VARCHAR) AS candidate_id FROM customer_home WHERE c_custkey % 13 = 0""",
+    "customer_home")
+
+cte("stg_candidates", f"""
+SELECT c.tenant_code, y.sy AS school_year, y.sy AS api_year, {K('c.tenant_code', 'c.candidate_id', 'y.sy')} AS k_candidate,
+       {K('c.tenant_code', 'c.candidate_id')} AS k_candidate_xyear, {K('c.tenant_code', 'c.candidate_id')} AS k_person,
+       c.candidate_id, c.c_name AS first_name,
+       CASE WHEN y.sy = 2023 THEN 'Earlier' ELSE upper(left(c.c_mktsegment, 1)) || lower(substr(c.c_mktsegment, 2)) END
+         AS last_name,
+       CASE WHEN c.c_custkey % 3 = 0 THEN 'Rae' END AS middle_name,
+       CASE WHEN c.c_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender,
+       (c.c_custkey % 9 = 0) AS has_hispanic_latino_ethnicity, (c.c_custkey % 4 = 0) AS is_economic_disadvantaged,
+       c.c_custkey
+FROM candidate_home c JOIN (VALUES (2024), (2023)) y(sy) ON y.sy = 2024 OR c.c_custkey % 2 = 0""", "candidate_home")
+
+cte("o_candidate_race", """
+SELECT c.k_candidate, r.race_array, c.has_hispanic_latino_ethnicity,
+       CASE WHEN coalesce(c.has_hispanic_latino_ethnicity, false) THEN 'Latinx'
+            WHEN coalesce(len(r.race_array), 0) > 1 THEN 'Multiple'
+            WHEN coalesce(len(r.race_array), 0) = 1 THEN r.race_array[1] ELSE 'Unknown' END AS race_ethnicity
+FROM stg_candidates c
+LEFT JOIN (SELECT k_candidate, list_sort(list(race)) AS race_array FROM (
+             SELECT k_candidate, 'White' AS race FROM stg_candidates WHERE c_custkey % 5 IN (0, 1)
+             UNION ALL SELECT k_candidate, 'Asian' FROM stg_candidates WHERE c_custkey % 5 = 1) u
+           GROUP BY 1) r ON c.k_candidate = r.k_candidate""", "stg_candidates")
+
+cte("o_immutable_candidate_demos", """
+SELECT * FROM (
+  SELECT c.k_candidate, c.k_candidate_xyear, c.tenant_code, c.school_year, c.first_name, c.middle_name, c.last_name,
+         c.last_name || ', ' || c.first_name || coalesce(' ' || left(c.middle_name, 1), '') AS display_name,
+         c.last_name || ', ' || c.first_name || coalesce(' ' || left(c.middle_name, 1), '') || ' (' || c.candidate_id
+           || ')' AS safe_display_name,
+         c.gender, r.race_ethnicity, r.race_array, c.has_hispanic_latino_ethnicity
+  FROM stg_candidates c LEFT JOIN o_candidate_race r ON c.k_candidate = r.k_candidate) t
+QUALIFY row_number() OVER (PARTITION BY k_candidate ORDER BY school_year DESC NULLS FIRST) = 1""",
+    "stg_candidates", "o_candidate_race")
+
+cte("o_dim_candidate", """
+SELECT c.k_candidate, c.k_candidate_xyear, c.k_person, c.tenant_code, c.school_year, c.candidate_id,
+       c.is_economic_disadvantaged, d.first_name, d.middle_name, d.last_name, d.display_name, d.safe_display_name,
+       d.gender, d.race_ethnicity, d.race_array, d.has_hispanic_latino_ethnicity,
+       left(c.first_name, 2) || '-A' AS alias_first_name, upper(c.last_name) AS alias_last_surname
+FROM stg_candidates c JOIN o_immutable_candidate_demos d ON c.k_candidate = d.k_candidate""",
+    "stg_candidates", "o_immutable_candidate_demos")
+
+cte("o_dim_epp", f"""
+SELECT {K('t.tenant_code', 'p.pt')} AS k_educator_preparation_program, t.tenant_code, 'EPP-' || p.pt AS program_id,
+       p.pt || ' Preparation' AS program_name, p.pt AS program_type
+FROM (SELECT DISTINCT tenant_code FROM nation_tenant) t
+CROSS JOIN (VALUES ('Traditional'), ('Alternative')) p(pt)""", "nation_tenant")
+
+cte("o_fct_candidate_epp", f"""
+SELECT d.k_candidate, d.k_candidate_xyear, e.k_educator_preparation_program, s.tenant_code, s.school_year,
+       s.begin_date, s.end_date, s.program_type
+FROM (SELECT tenant_code, 2024 AS school_year, {K('tenant_code', 'candidate_id', '2024')} AS k_candidate,
+             {K('tenant_code', "CASE WHEN c_custkey % 2 = 0 THEN 'Traditional' ELSE 'Alternative' END")} AS k_epp,
+             DATE '2023-09-01' AS begin_date, CASE WHEN c_custkey % 3 = 0 THEN DATE '2024-05-30' END AS end_date,
+             CASE WHEN c_custkey % 2 = 0 THEN 'Traditional' ELSE 'Alternative' END AS program_type
+      FROM candidate_home) s
+JOIN o_dim_epp e ON s.k_epp = e.k_educator_preparation_program
+JOIN o_dim_candidate d ON s.k_candidate = d.k_candidate""", "candidate_home", "o_dim_epp", "o_dim_candidate")
+
+cte("o_dim_cert_exam", f"""
+SELECT t.tenant_code, 2024 AS school_year, {K('t.tenant_code', 'e.x')} AS k_certification_exam,
+       upper(replace(e.x, ' ', '_')) AS certification_exam_id, e.x AS certification_exam_title,
+       'Licensure' AS certification_exam_type
+FROM (SELECT DISTINCT tenant_code FROM nation_tenant) t
+CROSS JOIN (VALUES ('Praxis Core'), ('Praxis Subject')) e(x)""", "nation_tenant")
+
+cte("o_fct_cert_result", f"""
+SELECT c.tenant_code, 2024 AS school_year, {K('c.tenant_code', 'c.candidate_id', 'e.x', '1')} AS k_certification_exam_result,
+       {K('c.tenant_code', 'c.candidate_id')} AS k_person, {K('c.tenant_code', 'e.x')} AS k_certification_exam,
+       DATE '2024-01-10' AS certification_exam_date, 1 AS attempt_number,
+       CASE WHEN (c.c_custkey + length(e.x)) % 200 >= 100 THEN 'Pass' ELSE 'Fail' END
+         AS certification_exam_pass_indicator,
+       CAST((c.c_custkey + length(e.x)) % 200 AS VARCHAR) AS certification_exam_score
+FROM candidate_home c CROSS JOIN (VALUES ('Praxis Core'), ('Praxis Subject')) e(x)""", "candidate_home")
+
+cte("o_fct_candidate_staff", f"""
+SELECT s.k_candidate, s.k_staff, s.tenant_code, s.api_year, s.begin_date, s.staff_to_candidate_relationship
+FROM (SELECT tenant_code, 2024 AS api_year, {K('tenant_code', 'candidate_id', '2024')} AS k_candidate,
+             {K('tenant_code', "'T' || CAST(c_custkey AS VARCHAR)")} AS k_staff, DATE '2023-09-01' AS begin_date,
+             'Mentor' AS staff_to_candidate_relationship
+      FROM candidate_home WHERE c_custkey % 47 = 0) s
+JOIN o_dim_candidate c ON s.k_candidate = c.k_candidate
+JOIN o_dim_staff st ON s.k_staff = st.k_staff""", "candidate_home", "o_dim_candidate", "o_dim_staff")

@@ -114,3 +114,10 @@ final("ds_course_char__combined_wide", "o_course_char_wide", lists=("course_leve
 final("ds_course_subject", "o_course_subject", lists=("academic_subjects",))
 final("ds_wide_ids_course", "o_wide_ids_course", bigint=("api_year",))
 final("ds_brg_course_section_program", "o_brg_section_program")
+final("ds_immutable_candidate_demos", "o_immutable_candidate_demos", bigint=("school_year",), lists=("race_array",))
+final("ds_dim_candidate", "o_dim_candidate", bigint=("school_year",), lists=("race_array",))
+final("ds_dim_educator_preparation_program", "o_dim_epp")
+final("ds_fct_candidate_educator_preparation_program_association", "o_fct_candidate_epp", bigint=("school_year",))
+final("ds_dim_certification_exam", "o_dim_cert_exam", bigint=("school_year",))
+final("ds_fct_certification_exam_result", "o_fct_cert_result", bigint=("school_year", "attempt_number"))
+final("ds_fct_candidate_staff_association", "o_fct_candidate_staff", bigint=("api_year",))

@@ -73,6 +73,10 @@ CLASS_PERIODS = [
 ]
 # fixed values: descriptor URI prefix of course level characteristics
 CHAR_URI = "uri://rollcall.example/CourseLevelCharacteristicDescriptor#"
+# fixed values: candidates are customers whose key is a multiple of this
+CANDIDATE_KEY_STEP = 13
+# fixed values: certification exams
+CERT_EXAMS = ["Praxis Core", "Praxis Subject"]
 # fixed values: races by c_custkey % 5 (index 4 = no race rows)
 RACES_BY_KEY = [["White"], ["Black - African American"], ["White", "Asian"], ["Asian"], []]
 
@@ -88,8 +92,8 @@ class DriverTables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
-def _mod(col: str, n: int) -> Column:
-    return F.pmod(F.col(col), F.lit(n))
+def _mod(col, n: int) -> Column:
+    return F.pmod(F.col(col) if isinstance(col, str) else col, F.lit(n))
 
 
 class Staging:
@@ -929,3 +933,85 @@ class Staging:
         prio = F.element_at(F.array(*[F.lit(x) for x in prios]), (_mod("p_partkey", 6) + 1).cast("int"))
         return p.select("tenant_code", key("tenant_code", "p_partkey", F.lit("S1")).alias("k_course_section"),
                         key("tenant_code", prio).alias("k_program"))
+
+    # ---- educator preparation (customers) -----------------------------------------
+    def _candidate_home(self) -> DataFrame:
+        c = self("customer_home").filter(_mod("c_custkey", CANDIDATE_KEY_STEP) == 0)
+        return c.withColumn("candidate_id", F.concat(F.lit("C"), F.col("c_custkey").cast("string")))
+
+    def _stg_tpdm__candidates(self) -> DataFrame:
+        c = self("candidate_home")
+        years = F.when(_mod("c_custkey", 2) == 0, F.array(F.lit(SCHOOL_YEAR), F.lit(PRIOR_YEAR))).otherwise(
+            F.array(F.lit(SCHOOL_YEAR)))
+        x = c.select("*", F.explode(years).alias("school_year"))
+        return x.select("tenant_code", "school_year", F.col("school_year").alias("api_year"),
+                        key("tenant_code", "candidate_id", "school_year").alias("k_candidate"),
+                        key("tenant_code", "candidate_id").alias("k_candidate_xyear"),
+                        key("tenant_code", "candidate_id").alias("k_person"), "candidate_id",
+                        F.col("c_name").alias("first_name"),
+                        F.when(F.col("school_year") == PRIOR_YEAR, F.lit("Earlier")).otherwise(
+                            F.initcap("c_mktsegment")).alias("last_name"),
+                        F.when(_mod("c_custkey", 3) == 0, F.lit("Rae")).alias("middle_name"),
+                        F.when(_mod("c_custkey", 2) == 0, "Female").otherwise("Male").alias("gender"),
+                        (_mod("c_custkey", 9) == 0).alias("has_hispanic_latino_ethnicity"),
+                        (_mod("c_custkey", 4) == 0).alias("is_economic_disadvantaged"))
+
+    def _stg_tpdm__candidate__races(self) -> DataFrame:
+        c = self("stg_tpdm__candidates").select("k_candidate", "candidate_id")
+        r = self("candidate_home").select("candidate_id", "c_custkey")
+        j = c.join(r, "candidate_id")
+        races = F.when(_mod("c_custkey", 5) == 0, F.array(F.lit("White"))).when(
+            _mod("c_custkey", 5) == 1, F.array(F.lit("White"), F.lit("Asian"))).otherwise(F.array().cast("array<string>"))
+        return j.select("k_candidate", F.explode(races).alias("race"))
+
+    def _stg_tpdm__candidates__other_names(self) -> DataFrame:
+        c = self("stg_tpdm__candidates")
+        return c.select("tenant_code", "api_year", "k_candidate", "k_candidate_xyear",
+                        F.lit("Alias").alias("other_name_type"),
+                        F.concat(F.left("first_name", F.lit(2)), F.lit("-A")).alias("first_name"),
+                        F.upper("last_name").alias("last_surname"))
+
+    def _stg_tpdm__educator_preparation_programs(self) -> DataFrame:
+        t = self("nation_tenant").select("tenant_code").distinct()
+        x = t.select("tenant_code", F.explode(F.array(F.lit("Traditional"), F.lit("Alternative"))).alias("program_type"))
+        return x.select("tenant_code", key("tenant_code", "program_type").alias("k_educator_preparation_program"),
+                        F.concat(F.lit("EPP-"), F.col("program_type")).alias("program_id"),
+                        F.concat(F.col("program_type"), F.lit(" Preparation")).alias("program_name"), "program_type")
+
+    def _stg_tpdm__candidate_educator_preparation_program_associations(self) -> DataFrame:
+        c = self("candidate_home")
+        ptype = F.when(_mod("c_custkey", 2) == 0, F.lit("Traditional")).otherwise(F.lit("Alternative"))
+        return c.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+                        key("tenant_code", "candidate_id", F.lit(SCHOOL_YEAR)).alias("k_candidate"),
+                        key("tenant_code", ptype).alias("k_educator_preparation_program"),
+                        F.lit(dt.date(2023, 9, 1)).alias("begin_date"),
+                        F.when(_mod("c_custkey", 3) == 0, F.lit(dt.date(2024, 5, 30))).alias("end_date"),
+                        ptype.alias("program_type"))
+
+    def _stg_tpdm__certification_exams(self) -> DataFrame:
+        t = self("nation_tenant").select("tenant_code").distinct()
+        x = t.select("tenant_code", F.explode(F.array(*[F.lit(e) for e in CERT_EXAMS])).alias("certification_exam_title"))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+                        key("tenant_code", "certification_exam_title").alias("k_certification_exam"),
+                        F.upper(F.regexp_replace("certification_exam_title", " ", "_")).alias("certification_exam_id"),
+                        "certification_exam_title", F.lit("Licensure").alias("certification_exam_type"))
+
+    def _stg_tpdm__certification_exam_results(self) -> DataFrame:
+        c = self("candidate_home")
+        x = c.select("*", F.explode(F.array(*[F.lit(e) for e in CERT_EXAMS])).alias("exam"))
+        score = _mod(F.col("c_custkey") + F.length("exam"), 200)
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+                        key("tenant_code", "candidate_id", "exam", F.lit(1)).alias("k_certification_exam_result"),
+                        key("tenant_code", "candidate_id").alias("k_person"),
+                        key("tenant_code", "exam").alias("k_certification_exam"),
+                        F.lit(dt.date(2024, 1, 10)).alias("certification_exam_date"), F.lit(1).alias("attempt_number"),
+                        F.when(score >= 100, "Pass").otherwise("Fail").alias("certification_exam_pass_indicator"),
+                        score.cast("string").alias("certification_exam_score"))
+
+    def _stg_tpdm__candidate_relationship_to_staff_associations(self) -> DataFrame:
+        c = self("candidate_home").filter(_mod("c_custkey", STAFF_KEY_STEP) == 0)
+        return c.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "candidate_id", F.lit(SCHOOL_YEAR)).alias("k_candidate"),
+                        key("tenant_code", F.concat(F.lit("T"), F.col("c_custkey").cast("string"))).alias("k_staff"),
+                        F.lit(dt.date(2023, 9, 1)).alias("begin_date"),
+                        F.lit("Mentor").alias("staff_to_candidate_relationship"))
