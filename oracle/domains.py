@@ -1004,3 +1004,18 @@ FROM (SELECT tenant_code, 2024 AS api_year, {K('tenant_code', 'candidate_id', '2
       FROM candidate_home WHERE c_custkey % 47 = 0) s
 JOIN o_dim_candidate c ON s.k_candidate = c.k_candidate
 JOIN o_dim_staff st ON s.k_staff = st.k_staff""", "candidate_home", "o_dim_candidate", "o_dim_staff")
+
+# ---------------------------------------------------------------- config-injected columns
+cte("o_dim_student_custom", """
+SELECT s.*, (s.gender = 'Female' AND s.is_gifted) AS is_female_gifted, coalesce(i.has_iep, false) AS has_iep,
+       coalesce(s.grade_level_integer >= 3, false) AS is_upper_grade
+FROM o_dim_student s LEFT JOIN o_student_indicators i ON s.k_student = i.k_student""",
+    "o_dim_student", "o_student_indicators")
+
+cte("o_dim_school_custom", """
+SELECT d.*, 2024 AS api_year, d.school_category = 'Elementary School' AS is_elementary FROM o_dim_school d""",
+    "o_dim_school")
+
+cte("o_dq_d17", """
+SELECT k_student, count(*) AS n_records, 'bld_student_indicators' AS source
+FROM o_student_indicators GROUP BY 1 HAVING count(*) > 1""", "o_student_indicators")

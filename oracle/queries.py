@@ -121,3 +121,7 @@ final("ds_fct_candidate_educator_preparation_program_association", "o_fct_candid
 final("ds_dim_certification_exam", "o_dim_cert_exam", bigint=("school_year",))
 final("ds_fct_certification_exam_result", "o_fct_cert_result", bigint=("school_year", "attempt_number"))
 final("ds_fct_candidate_staff_association", "o_fct_candidate_staff", bigint=("api_year",))
+final("ds_dim_student_custom", "o_dim_student_custom", bigint=("school_year", "grade_level_integer"),
+      lists=("race_array",))
+final("ds_dim_school_custom", "o_dim_school_custom", bigint=("api_year",))
+final("dq_d17_custom_student_sources_unique", "o_dq_d17")

@@ -6,7 +6,7 @@ DataFrames; ``rollcall.plans`` holds the dataset definitions,
 the Column helpers, ``rollcall.sources`` the staging relations and seeds.
 """
 
-from .config import TEST_CONFIG, Config
+from .config import CUSTOM_CONFIG, TEST_CONFIG, Config
 from .plans.registry import DATASETS, Warehouse, load_all
 
-__all__ = ["Config", "TEST_CONFIG", "Warehouse", "DATASETS", "load_all"]
+__all__ = ["Config", "TEST_CONFIG", "CUSTOM_CONFIG", "Warehouse", "DATASETS", "load_all"]

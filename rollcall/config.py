@@ -93,3 +93,17 @@ class Config:
 
 # The pinned configuration used by the registered queries and the tests.
 TEST_CONFIG = Config(as_of=_dt.date(2024, 1, 30))
+
+# The same run date with configured extras: an intersection group (P7),
+# expression columns over an extra source and over the row itself (P6), and
+# an extension passthrough column.
+CUSTOM_CONFIG = Config(
+    as_of=_dt.date(2024, 1, 30),
+    intersection_groups=(("is_female_gifted", "gender = 'Female' AND is_gifted"),),
+    custom_columns={
+        "dim_student": (("bld_student_indicators", "has_iep", "coalesce(bld_student_indicators.has_iep, false)"),
+                        (None, "is_upper_grade", "coalesce(grade_level_integer >= 3, false)")),
+        "dim_school": ((None, "is_elementary", "school_category = 'Elementary School'"),),
+    },
+    extensions={"stg_ef3__schools": ("api_year",)},
+)

@@ -56,6 +56,10 @@ def dim_school(wh) -> DataFrame:
     addr = wh("bld_school_address")
     ids = wh("bld_wide_ids_school").drop("tenant_code")
     id_cols = [c for c in ids.columns if c != "k_school"]
-    return (sch.join(lea, "k_lea", "inner").join(addr, "k_school", "left").join(ids, "k_school", "left")
-            .select("k_school", "k_lea", "tenant_code", "school_id", "school_name", "school_category", "lea_name",
-                    "address_type", "street_address", "city", "postal_code", *id_cols))
+    from .custom import add_custom_columns, add_extensions
+    sch = add_extensions(wh, "stg_ef3__schools", sch)
+    ext = [c for c in sch.columns if c in wh.config.extensions.get("stg_ef3__schools", ())]
+    out = (sch.join(lea, "k_lea", "inner").join(addr, "k_school", "left").join(ids, "k_school", "left")
+           .select("k_school", "k_lea", "tenant_code", "school_id", "school_name", "school_category", "lea_name",
+                   "address_type", "street_address", "city", "postal_code", *id_cols, *ext))
+    return add_custom_columns(wh, "dim_school", out, ["k_school"])

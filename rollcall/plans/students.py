@@ -102,11 +102,13 @@ def dim_student(wh) -> DataFrame:
         d = d.withColumn(c, F.coalesce(F.col(c), F.lit(False)))
     for name, expr in cfg.intersection_groups:
         d = d.withColumn(name, F.expr(expr))
-    return d.select("k_student", "k_student_xyear", "tenant_code", "school_year", "student_unique_id",
-                    "first_name", "middle_name", "last_name", "display_name", "safe_display_name", "birth_date",
-                    "ed_org_id", "gender", "lep_code", "has_hispanic_latino_ethnicity", "race_ethnicity",
-                    "race_array", "grade_level", "grade_level_integer", *flag_cols,
-                    *[n for n, _ in cfg.intersection_groups], "is_latest_record")
+    from .custom import add_custom_columns
+    out = d.select("k_student", "k_student_xyear", "tenant_code", "school_year", "student_unique_id",
+                   "first_name", "middle_name", "last_name", "display_name", "safe_display_name", "birth_date",
+                   "ed_org_id", "gender", "lep_code", "has_hispanic_latino_ethnicity", "race_ethnicity",
+                   "race_array", "grade_level", "grade_level_integer", *flag_cols,
+                   *[n for n, _ in cfg.intersection_groups], "is_latest_record")
+    return add_custom_columns(wh, "dim_student", out, ["k_student"])
 
 
 @dataset("bld_student__other_names", grain=("k_student",))
