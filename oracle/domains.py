@@ -1019,3 +1019,91 @@ SELECT d.*, 2024 AS api_year, d.school_category = 'Elementary School' AS is_elem
 cte("o_dq_d17", """
 SELECT k_student, count(*) AS n_records, 'bld_student_indicators' AS source
 FROM o_student_indicators GROUP BY 1 HAVING count(*) > 1""", "o_student_indicators")
+
+# ---------------------------------------------------------------- networks
+cte("o_dim_network", f"""
+SELECT {K('t.tenant_code', 'n.name')} AS k_network, t.tenant_code, upper(replace(n.name, ' ', '_')) AS network_id,
+       n.name AS network_name, n.purpose AS network_purpose
+FROM (SELECT DISTINCT tenant_code FROM nation_tenant) t
+CROSS JOIN (VALUES ('Region Network', 'Shared Services'), ('Charter Network', 'Charter Management')) n(name, purpose)""",
+    "nation_tenant")
+
+cte("o_wide_network", f"""
+SELECT k_school, tenant_code,
+       min(CASE WHEN network_type = 'charter' THEN k_network END) AS k_network__charter,
+       min(CASE WHEN network_type = 'region' THEN k_network END) AS k_network__region
+FROM (SELECT a.*, x.network_type FROM (
+        SELECT s.tenant_code, s.k_school, {K('s.tenant_code', 'v.n')} AS k_network, v.b AS begin_date, v.e AS end_date,
+               d.network_purpose
+        FROM stg_schools s
+        JOIN (VALUES ('Region Network', DATE '2020-07-01', CAST(NULL AS DATE), 1),
+                     ('Region Network', DATE '2018-07-01', DATE '2020-06-30', 3),
+                     ('Charter Network', DATE '2022-07-01', DATE '2023-06-30', 4)) v(n, b, e, m)
+          ON v.m = 1 OR s.school_id % v.m = 0
+        JOIN o_dim_network d ON {K('s.tenant_code', 'v.n')} = d.k_network
+        QUALIFY row_number() OVER (PARTITION BY s.k_school, d.network_purpose
+                                   ORDER BY v.e DESC NULLS FIRST, v.b DESC NULLS FIRST,
+                                            {K('s.tenant_code', 'v.n')} ASC) = 1) a
+      JOIN (VALUES ('region', 'Shared Services'), ('charter', 'Charter Management')) x(network_type, purpose)
+        ON a.network_purpose = x.purpose) w
+GROUP BY k_school, tenant_code""", "stg_schools", "o_dim_network")
+
+# ---------------------------------------------------------------- participation statuses, budgets
+cte("o_participation_status", """
+SELECT tenant_code, k_student_program, k_student, k_student_xyear, k_program, program_enroll_begin_date,
+       participation_status, program_enroll_begin_date AS status_begin_date,
+       program_enroll_end_date AS status_end_date, CAST(NULL AS VARCHAR) AS designated_by,
+       'stu_program' AS program_source
+FROM stg_prog_assoc
+UNION ALL
+SELECT tenant_code, k_student_program, k_student, k_student_xyear, k_program, program_enroll_begin_date,
+       'Eligible', program_enroll_begin_date, CAST(NULL AS DATE), 'Counselor', 'stu_homeless'
+FROM stg_prog_assoc WHERE program_name = '1-URGENT'""", "stg_prog_assoc")
+
+cte("o_fct_budgets", f"""
+SELECT s.*, a.k_school,
+       row_number() OVER (PARTITION BY s.k_local_account
+                          ORDER BY s.as_of_date DESC, s.k_local_budget_snapshot ASC) = 1 AS is_latest_snapshot
+FROM (SELECT tenant_code, {K('tenant_code', "'budget'", 'o_orderkey')} AS k_local_budget_snapshot,
+             {K('tenant_code', 'o_custkey')} AS k_local_account, o_totalprice AS amount, begin_date AS as_of_date,
+             CAST(home_school_id AS VARCHAR) AS ed_org_id, o_orderpriority AS financial_collection,
+             year(begin_date) AS fiscal_year, CAST(o_custkey AS VARCHAR) AS local_account_identifier
+      FROM orders_home WHERE o_orderstatus = 'O') s
+JOIN o_dim_local_account a ON s.k_local_account = a.k_local_account""", "orders_home", "o_dim_local_account")
+
+# ---------------------------------------------------------------- section attendance events
+cte("stg_section_events", f"""
+SELECT hu.tenant_code, 2024 AS school_year, {K('hu.tenant_code', 'e.user_id', '2024')} AS k_student,
+       {K('hp.tenant_code', 'e.event_id % 200', "'S1'")} AS k_course_section,
+       CAST(e.ts AS DATE) AS attendance_event_date,
+       CASE WHEN e.event_type = 'view' THEN 'Tardy' ELSE e.event_type END AS attendance_event_category,
+       CAST(e.event_id AS VARCHAR) AS attendance_event_reason
+FROM events e
+JOIN home_school hu ON e.user_id % 10 = hu.home_school_id
+JOIN home_school hp ON (e.event_id % 200) % 10 = hp.home_school_id
+WHERE e.event_type IN ('click', 'view')""", "home_school")
+
+cte("o_fct_section_events", """
+SELECT e.k_student, s.k_student_xyear, e.k_course_section, c.k_school, e.tenant_code, e.school_year,
+       e.attendance_event_date, e.attendance_event_category, e.attendance_event_reason, x.is_absent,
+       x.attendance_excusal_status
+FROM stg_section_events e
+JOIN o_dim_student s ON e.k_student = s.k_student
+JOIN o_dim_course_section c ON e.k_course_section = c.k_course_section
+LEFT JOIN xwalk_attendance_events x ON e.attendance_event_category = x.attendance_event_descriptor""",
+    "stg_section_events", "o_dim_student", "o_dim_course_section", "xwalk_attendance_events")
+
+cte("o_dq_d10", """
+SELECT v.attendance_event_category, v.n_records
+FROM (SELECT attendance_event_category, count(*) AS n_records FROM stg_section_events GROUP BY 1) v
+LEFT JOIN xwalk_attendance_events x ON v.attendance_event_category = x.attendance_event_descriptor
+WHERE x.is_absent IS NULL""", "stg_section_events", "xwalk_attendance_events")
+
+cte("o_dq_d2", """
+SELECT DISTINCT f.tenant_code, f.school_year, d.assessment_identifier, d.assessment_family
+FROM o_fct_student_assessment f
+JOIN o_dim_assessment d ON f.k_assessment = d.k_assessment
+LEFT JOIN (VALUES (NULL, NULL), ('1-URGENT', NULL), (NULL, 'Benchmark'), (NULL, NULL)) x(i, fam)
+  ON coalesce(x.i, '1') = CASE WHEN x.i IS NULL THEN '1' ELSE d.assessment_identifier END
+ AND coalesce(x.fam, '1') = CASE WHEN x.fam IS NULL THEN '1' ELSE d.assessment_family END
+WHERE x.i IS NULL AND x.fam IS NULL""", "o_fct_student_assessment", "o_dim_assessment")

@@ -125,3 +125,11 @@ final("ds_dim_student_custom", "o_dim_student_custom", bigint=("school_year", "g
       lists=("race_array",))
 final("ds_dim_school_custom", "o_dim_school_custom", bigint=("api_year",))
 final("dq_d17_custom_student_sources_unique", "o_dq_d17")
+final("ds_dim_network", "o_dim_network")
+final("ds_wide_school_network_assoc", "o_wide_network")
+final("ds_fct_student_program_participation_status", "o_participation_status")
+final("ds_fct_local_budget_snapshots", "o_fct_budgets", bigint=("fiscal_year",))
+final("ds_fct_student_section_attendance_event", "o_fct_section_events", bigint=("school_year",),
+      double=("is_absent",))
+final("dq_d10_section_attendance_event_codes", "o_dq_d10")
+final("dq_d2_assessments_without_score_mapping", "o_dq_d2", bigint=("school_year",))

@@ -33,3 +33,12 @@ def fct_local_actual_snapshots(wh) -> DataFrame:
     return j.select("k_local_actual_snapshot", "k_local_account", "k_school", "tenant_code", "as_of_date",
                     "local_account_identifier", "ed_org_id", "fiscal_year", "amount", "financial_collection",
                     "is_latest_snapshot")
+
+
+@dataset("fct_local_budget_snapshots", grain=("k_local_budget_snapshot",), domain="finance")
+def fct_local_budget_snapshots(wh) -> DataFrame:
+    """Budgets of known accounts (J1) with the latest-snapshot flag (W3, skew-safe)."""
+    s = wh("stg_ef3__local_budgets")
+    j = s.join(wh("dim_local_account").select("k_local_account", "k_school"), "k_local_account")
+    neg_days = -F.datediff(F.col("as_of_date"), F.lit("1970-01-01").cast("date"))
+    return flag_first_by_key(j, "is_latest_snapshot", ["k_local_account"], neg_days, "k_local_budget_snapshot")

@@ -63,3 +63,26 @@ def dim_school(wh) -> DataFrame:
            .select("k_school", "k_lea", "tenant_code", "school_id", "school_name", "school_category", "lea_name",
                    "address_type", "street_address", "city", "postal_code", *id_cols, *ext))
     return add_custom_columns(wh, "dim_school", out, ["k_school"])
+
+
+@dataset("dim_network", grain=("k_network",))
+def dim_network(wh) -> DataFrame:
+    """P1 projection of networks."""
+    return wh("stg_ef3__education_organization_networks").select(
+        "k_network", "tenant_code", "network_id", "network_name", "network_purpose")
+
+
+@dataset("bld_wide_school_network_assoc", grain=("k_school", "tenant_code"))
+def wide_school_network_assoc(wh) -> DataFrame:
+    """Latest association per (school, network purpose), open end
+    dates first, then pivoted to ``k_network__{type}`` through the crosswalk."""
+    from ..operators.dedupe import deduplicate
+    a = wh("stg_ef3__education_organization_network_associations")
+    j = a.join(wh("dim_network").select("k_network", "network_purpose"), "k_network")
+    d = deduplicate(j, ["k_school", "network_purpose"], [
+        F.col("end_date").desc_nulls_first(), F.col("begin_date").desc_nulls_first(), F.col("k_network").asc()])
+    xw = seed(wh("xwalk_network_association_types")).filter(F.col("association_type") == "school")
+    d = d.join(xw, "network_purpose")
+    types = crosswalk_values(xw, "network_type")
+    return pivot_values(d, ["k_school", "tenant_code"], "network_type", types, "k_network", agg="min",
+                        prefix="k_network__")

@@ -126,3 +126,19 @@ def fct_student_program_service(wh) -> DataFrame:
         "k_student_program", "k_student", "k_student_xyear", "k_program", "k_school", "tenant_code",
         "program_enroll_begin_date", "program_service", "primary_indicator", "service_begin_date",
         "service_end_date", "program_source")
+
+
+# program statuses come from several program stages with different columns
+PARTICIPATION_SOURCES = ("stg_ef3__stu_program__program_participation_statuses",
+                         "stg_ef3__stu_homeless__program_participation_statuses")
+
+
+@dataset("fct_student_program_participation_status",
+         grain=("k_student_program", "participation_status", "status_begin_date"))
+def fct_student_program_participation_status(wh) -> DataFrame:
+    """Statuses of every configured program stage, unioned by name
+    (missing columns NULL) with the stage named; no dimension join."""
+    from ..operators.sets import union_all
+    frames = [wh(s) for s in PARTICIPATION_SOURCES]
+    return union_all(frames, allow_missing=True, source_col="program_source",
+                     names=[s.split("__")[1] for s in PARTICIPATION_SOURCES])

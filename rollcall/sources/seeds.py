@@ -117,6 +117,13 @@ COURSE_LEVEL_CHARACTERISTICS = [("Honors", "is_honors"), ("Dual Credit", "is_dua
 # fixed values: course identification systems -> column stems
 ID_TYPES_COURSE = [("LEA course code", "lea"), ("SCED course code", "sced")]
 
+# fixed values: network association types (association, network type, purpose)
+NETWORK_ASSOCIATION_TYPES = [
+    ("school", "region", "Shared Services"),
+    ("school", "charter", "Charter Management"),
+    ("lea", "region", "Shared Services"),
+]
+
 # fixed values: student characteristic descriptors -> indicator column names
 STUDENT_CHARACTERISTICS = [
     ("Economic Disadvantaged", "is_economic_disadvantaged"),
@@ -135,6 +142,7 @@ _SCHEMAS = {
     "xwalk_subgroup_value_display_names": "subgroup_category string, subgroup_value string, subgroup_value_display_name string",
     "xwalk_student_programs": "program_name string, indicator_name string, is_active boolean, is_annual boolean, is_ever boolean",
     "xwalk_discipline_behaviors": "behavior_type string, severity_order int",
+    "xwalk_network_association_types": "association_type string, network_type string, network_purpose string",
     "xwalk_course_level_characteristics": "characteristic_descriptor string, indicator_name string",
     "xwalk_id_types_course": "id_system string, id_name string",
     "xwalk_student_indicators": "original_indicator_name string, dim_stu_name string, type string",
@@ -156,6 +164,7 @@ _ROWS = {
     "xwalk_subgroup_value_display_names": SUBGROUP_VALUE_NAMES,
     "xwalk_student_programs": STUDENT_PROGRAMS,
     "xwalk_discipline_behaviors": DISCIPLINE_BEHAVIORS,
+    "xwalk_network_association_types": NETWORK_ASSOCIATION_TYPES,
     "xwalk_course_level_characteristics": COURSE_LEVEL_CHARACTERISTICS,
     "xwalk_id_types_course": ID_TYPES_COURSE,
     "xwalk_student_indicators": STUDENT_INDICATORS,

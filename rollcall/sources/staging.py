@@ -1015,3 +1015,72 @@ class Staging:
                         key("tenant_code", F.concat(F.lit("T"), F.col("c_custkey").cast("string"))).alias("k_staff"),
                         F.lit(dt.date(2023, 9, 1)).alias("begin_date"),
                         F.lit("Mentor").alias("staff_to_candidate_relationship"))
+
+    # ---- networks (supplier, region) --------------------------------------------
+    def _stg_ef3__education_organization_networks(self) -> DataFrame:
+        t = self("nation_tenant").select("tenant_code").distinct()
+        n = F.explode(F.array(F.struct(F.lit("Region Network").alias("name"), F.lit("Shared Services").alias("purpose")),
+                              F.struct(F.lit("Charter Network").alias("name"), F.lit("Charter Management").alias("purpose"))))
+        x = t.select("tenant_code", n.alias("n"))
+        return x.select("tenant_code", key("tenant_code", F.col("n.name")).alias("k_network"),
+                        F.col("n.name").alias("network_name"), F.col("n.purpose").alias("network_purpose"),
+                        F.upper(F.regexp_replace(F.col("n.name"), " ", "_")).alias("network_id"))
+
+    def _stg_ef3__education_organization_network_associations(self) -> DataFrame:
+        sch = self("stg_ef3__schools").select("tenant_code", "k_school", "school_id")
+        a = F.filter(F.array(
+            F.struct(F.lit("Region Network").alias("n"), F.lit(dt.date(2020, 7, 1)).alias("b"),
+                     F.lit(None).cast("date").alias("e")),
+            F.when(_mod("school_id", 3) == 0, F.struct(F.lit("Region Network").alias("n"),
+                                                       F.lit(dt.date(2018, 7, 1)).alias("b"),
+                                                       F.lit(dt.date(2020, 6, 30)).alias("e"))),
+            F.when(_mod("school_id", 4) == 0, F.struct(F.lit("Charter Network").alias("n"),
+                                                       F.lit(dt.date(2022, 7, 1)).alias("b"),
+                                                       F.lit(dt.date(2023, 6, 30)).alias("e")))),
+            lambda x: x.isNotNull())
+        x = sch.select("*", F.explode(a).alias("a"))
+        return x.select("tenant_code", "k_school", key("tenant_code", F.col("a.n")).alias("k_network"),
+                        F.col("a.b").alias("begin_date"), F.col("a.e").alias("end_date"))
+
+    # ---- section attendance events (events) ---------------------------------------
+    def _stg_ef3__student_section_attendance_events(self) -> DataFrame:
+        ev = (self.t("events").select("event_id", "ts", "user_id", "event_type")
+              .filter(F.col("event_type").isin("click", "view")))
+        hs = self("home_school")
+        j = (ev.join(hs.select(F.col("home_school_id").alias("u_school"), "tenant_code"),
+                     _mod("user_id", N_HOME_SCHOOLS) == F.col("u_school"))
+             .join(hs.select(F.col("home_school_id").alias("p_school"), F.col("tenant_code").alias("p_tenant")),
+                   _mod(_mod("event_id", 200), N_HOME_SCHOOLS) == F.col("p_school")))
+        return j.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+                        key("tenant_code", "user_id", F.lit(SCHOOL_YEAR)).alias("k_student"),
+                        key("p_tenant", _mod("event_id", 200), F.lit("S1")).alias("k_course_section"),
+                        F.to_date("ts").alias("attendance_event_date"),
+                        F.when(F.col("event_type") == "view", "Tardy").otherwise(F.col("event_type"))
+                        .alias("attendance_event_category"),
+                        F.col("event_id").cast("string").alias("attendance_event_reason"))
+
+    # ---- program participation statuses, local budgets (orders) ---------------------
+    def _stg_ef3__stu_program__program_participation_statuses(self) -> DataFrame:
+        a = self("stg_ef3__student_program_associations")
+        return a.select("tenant_code", "k_student_program", "k_student", "k_student_xyear", "k_program",
+                        "program_enroll_begin_date", "participation_status",
+                        F.col("program_enroll_begin_date").alias("status_begin_date"),
+                        F.col("program_enroll_end_date").alias("status_end_date"))
+
+    def _stg_ef3__stu_homeless__program_participation_statuses(self) -> DataFrame:
+        a = self("stg_ef3__student_program_associations").filter(F.col("program_name") == "1-URGENT")
+        return a.select("tenant_code", "k_student_program", "k_student", "k_student_xyear", "k_program",
+                        "program_enroll_begin_date", F.lit("Eligible").alias("participation_status"),
+                        F.col("program_enroll_begin_date").alias("status_begin_date"),
+                        F.lit("Counselor").alias("designated_by"))
+
+    def _stg_ef3__local_budgets(self) -> DataFrame:
+        o = self("orders_home").filter(F.col("o_orderstatus") == "O")
+        return o.select("tenant_code",
+                        key("tenant_code", F.lit("budget"), "o_orderkey").alias("k_local_budget_snapshot"),
+                        key("tenant_code", "o_custkey").alias("k_local_account"),
+                        F.col("o_totalprice").alias("amount"), F.col("begin_date").alias("as_of_date"),
+                        F.col("home_school_id").cast("string").alias("ed_org_id"),
+                        F.col("o_orderpriority").alias("financial_collection"),
+                        F.year("begin_date").alias("fiscal_year"),
+                        F.col("o_custkey").cast("string").alias("local_account_identifier"))
