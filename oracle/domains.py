@@ -1107,3 +1107,51 @@ LEFT JOIN (VALUES (NULL, NULL), ('1-URGENT', NULL), (NULL, 'Benchmark'), (NULL,
   ON coalesce(x.i, '1') = CASE WHEN x.i IS NULL THEN '1' ELSE d.assessment_identifier END
  AND coalesce(x.fam, '1') = CASE WHEN x.fam IS NULL THEN '1' ELSE d.assessment_family END
 WHERE x.i IS NULL AND x.fam IS NULL""", "o_fct_student_assessment", "o_dim_assessment")
+
+# ---------------------------------------------------------------- transcripts, chart of accounts, ESC
+cte("o_fct_transcripts", f"""
+SELECT t.k_course, t.k_student_academic_record, r.k_student, r.k_student_xyear, r.tenant_code, r.school_year,
+       r.academic_term, t.course_attempt_result, coalesce(t.course_title, c.course_title) AS course_title,
+       t.earned_credits, t.final_letter_grade_earned
+FROM (SELECT {K('hp.tenant_code', 'l.l_partkey')} AS k_course,
+             {K('hu.tenant_code', 'o.o_custkey', '2024',
+                "CASE WHEN l.l_linenumber % 2 = 1 THEN 'Fall' ELSE 'Spring' END")} AS k_student_academic_record,
+             CASE WHEN l.l_returnflag = 'R' THEN 'Fail' ELSE 'Pass' END AS course_attempt_result,
+             CASE WHEN l.l_linenumber % 3 <> 0 THEN 'Transcript ' || CAST(l.l_partkey AS VARCHAR) END AS course_title,
+             l.l_quantity / 10.0 AS earned_credits, l.l_returnflag AS final_letter_grade_earned
+      FROM lineitem l
+      JOIN orders o ON l.l_orderkey = o.o_orderkey
+      JOIN home_school hu ON o.o_custkey % 10 = hu.home_school_id
+      JOIN home_school hp ON l.l_partkey % 10 = hp.home_school_id) t
+JOIN o_fct_academic_record r ON t.k_student_academic_record = r.k_student_academic_record
+JOIN o_dim_course c ON t.k_course = c.k_course""", "home_school", "o_fct_academic_record", "o_dim_course")
+
+_DIMS = [("fund", 5), ("function", 7), ("object", 11), ("program", 13), ("project", 3), ("source", 4),
+         ("operational_unit", 6), ("balance_sheet", 9)]
+
+cte("o_dim_chart_of_account", "SELECT a.*, " + ", ".join(
+    f"d{i}.{d}_dimension_code, d{i}.{d}_dimension_code_name" for i, (d, _m) in enumerate(_DIMS)) + f"""
+FROM (SELECT tenant_code, 2024 AS fiscal_year, {K('tenant_code', "'coa'", 'p_partkey')} AS k_chart_of_account,
+             CAST(p_partkey AS VARCHAR) AS chart_of_account_identifier, p_name AS chart_of_account_name,
+             {K('tenant_code', 'home_school_id')} AS k_school, """ + ", ".join(
+    f"{K('tenant_code', repr(d), f'p_size % {m}')} AS k_{d}_dimension" for d, m in _DIMS) + """
+      FROM part_home) a
+""" + "\n".join(
+    f"""LEFT JOIN (SELECT {K('t.tenant_code', repr(d), 'c.code')} AS k, CAST(c.code AS VARCHAR) AS {d}_dimension_code,
+                  '{d.replace('_', ' ').title()} ' || CAST(c.code AS VARCHAR) AS {d}_dimension_code_name
+           FROM (SELECT DISTINCT tenant_code FROM nation_tenant) t
+           CROSS JOIN (SELECT range AS code FROM range(0, {m - 1})) c) d{i} ON a.k_{d}_dimension = d{i}.k"""
+    for i, (d, m) in enumerate(_DIMS)), "part_home", "nation_tenant")
+
+cte("o_dim_esc", f"""
+SELECT e.k_esc, e.tenant_code, e.esc_id, e.esc_name, a.address_type, a.street_address
+FROM (SELECT r_name AS tenant_code, {K('r_name', "'esc'")} AS k_esc, CAST(r_regionkey AS VARCHAR) AS esc_id,
+             array_to_string(list_transform(string_split(lower(r_name), ' '),
+                                            lambda w: upper(left(w, 1)) || substr(w, 2)), ' ')
+               || ' Service Center' AS esc_name, r_regionkey
+      FROM region) e
+LEFT JOIN (SELECT {K('r_name', "'esc'")} AS k_esc,
+                  CASE WHEN r_regionkey % 2 = 0 THEN 'Physical' ELSE 'Billing' END AS address_type,
+                  CASE WHEN r_regionkey % 2 = 0 THEN 'Physical' ELSE 'Billing' END || ' Way '
+                    || CAST(r_regionkey AS VARCHAR) AS street_address
+           FROM region) a ON e.k_esc = a.k_esc""")

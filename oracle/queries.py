@@ -133,3 +133,6 @@ final("ds_fct_student_section_attendance_event", "o_fct_section_events", bigint=
       double=("is_absent",))
 final("dq_d10_section_attendance_event_codes", "o_dq_d10")
 final("dq_d2_assessments_without_score_mapping", "o_dq_d2", bigint=("school_year",))
+final("ds_fct_course_transcripts", "o_fct_transcripts", bigint=("school_year",))
+final("ds_dim_chart_of_account", "o_dim_chart_of_account", bigint=("fiscal_year",))
+final("ds_dim_esc", "o_dim_esc")

@@ -42,3 +42,17 @@ def fct_local_budget_snapshots(wh) -> DataFrame:
     j = s.join(wh("dim_local_account").select("k_local_account", "k_school"), "k_local_account")
     neg_days = -F.datediff(F.col("as_of_date"), F.lit("1970-01-01").cast("date"))
     return flag_first_by_key(j, "is_latest_snapshot", ["k_local_account"], neg_days, "k_local_budget_snapshot")
+
+
+ACCOUNT_DIMENSION_NAMES = ("fund", "function", "object", "program", "project", "source", "operational_unit",
+                           "balance_sheet")
+
+
+@dataset("dim_chart_of_account", grain=("k_chart_of_account",), domain="finance")
+def dim_chart_of_account(wh) -> DataFrame:
+    """J2 x 8: account with the code and name of each optional dimension
+    (dimension tables are small, so the star of left joins broadcasts)."""
+    a = wh("stg_ef3__chart_of_accounts")
+    for d in ACCOUNT_DIMENSION_NAMES:
+        a = a.join(wh(f"stg_ef3__{d}_dimensions"), f"k_{d}_dimension", "left")
+    return a

@@ -86,3 +86,12 @@ def wide_school_network_assoc(wh) -> DataFrame:
     types = crosswalk_values(xw, "network_type")
     return pivot_values(d, ["k_school", "tenant_code"], "network_type", types, "k_network", agg="min",
                         prefix="k_network__")
+
+
+@dataset("dim_esc", grain=("k_esc",))
+def dim_esc(wh) -> DataFrame:
+    """Service centers with their chosen address: Physical if present, else first alphabetically."""
+    e = wh("stg_ef3__education_service_centers")
+    a = row_pluck(wh("stg_ef3__education_service_centers__addresses"), "k_esc", "address_type", "Physical").select(
+        "k_esc", "address_type", "street_address")
+    return e.join(a, "k_esc", "left")

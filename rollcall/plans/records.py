@@ -82,3 +82,18 @@ def diploma_record_duplicates(wh) -> DataFrame:
     d = flag_first(d, "is_kept_in_fct_student_diploma", _DIPLOMA_KEY,
                    [F.col("academic_term").asc_nulls_last(), F.col("k_student_academic_record").asc_nulls_last()])
     return d.filter(F.col("n_duplicates") > 1)
+
+
+@dataset("fct_course_transcripts", grain=("k_course", "k_student_academic_record", "course_attempt_result"))
+def fct_course_transcripts(wh) -> DataFrame:
+    """Transcript rows of known academic records and courses (J1); the title
+    falls back to the course's (F17)."""
+    t = wh("stg_ef3__course_transcripts").drop("tenant_code")
+    r = wh("fct_student_academic_record").select("k_student_academic_record", "k_student", "k_student_xyear",
+                                                 "tenant_code", "school_year", "academic_term")
+    c = wh("dim_course").select("k_course", F.col("course_title").alias("__course_title"))
+    j = t.join(r, "k_student_academic_record").join(c, "k_course")
+    return j.select("k_course", "k_student_academic_record", "k_student", "k_student_xyear", "tenant_code",
+                    "school_year", "academic_term", "course_attempt_result",
+                    F.coalesce("course_title", "__course_title").alias("course_title"), "earned_credits",
+                    "final_letter_grade_earned")

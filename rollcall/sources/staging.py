@@ -77,6 +77,12 @@ CHAR_URI = "uri://rollcall.example/CourseLevelCharacteristicDescriptor#"
 CANDIDATE_KEY_STEP = 13
 # fixed values: certification exams
 CERT_EXAMS = ["Praxis Core", "Praxis Subject"]
+# fixed values: chart-of-account dimensions (name, part column, modulus)
+ACCOUNT_DIMENSIONS = [
+    ("fund", "p_size", 5), ("function", "p_size", 7), ("object", "p_size", 11), ("program", "p_size", 13),
+    ("project", "p_size", 3), ("source", "p_size", 4), ("operational_unit", "p_size", 6),
+    ("balance_sheet", "p_size", 9),
+]
 # fixed values: races by c_custkey % 5 (index 4 = no race rows)
 RACES_BY_KEY = [["White"], ["Black - African American"], ["White", "Asian"], ["Asian"], []]
 
@@ -1084,3 +1090,83 @@ class Staging:
                         F.col("o_orderpriority").alias("financial_collection"),
                         F.year("begin_date").alias("fiscal_year"),
                         F.col("o_custkey").cast("string").alias("local_account_identifier"))
+
+    # ---- transcripts (lineitem) ----------------------------------------------------
+    def _stg_ef3__course_transcripts(self) -> DataFrame:
+        li = self.t("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
+        o = self.t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+        hs = self("home_school")
+        j = (li.join(o, "l_orderkey")
+             .join(hs.select(F.col("home_school_id").alias("u_school"), "tenant_code"),
+                   _mod("o_custkey", N_HOME_SCHOOLS) == F.col("u_school"))
+             .join(hs.select(F.col("home_school_id").alias("p_school"), F.col("tenant_code").alias("p_tenant")),
+                   _mod("l_partkey", N_HOME_SCHOOLS) == F.col("p_school")))
+        term = F.when(_mod("l_linenumber", 2) == 1, F.lit("Fall")).otherwise(F.lit("Spring"))
+        return j.select("tenant_code",
+                        key("p_tenant", "l_partkey").alias("k_course"),
+                        key("tenant_code", "o_custkey", F.lit(SCHOOL_YEAR), term).alias("k_student_academic_record"),
+                        F.when(F.col("l_returnflag") == "R", "Fail").otherwise("Pass").alias("course_attempt_result"),
+                        F.when(_mod("l_linenumber", 3) != 0, F.concat(F.lit("Transcript "), F.col("l_partkey").cast("string")))
+                        .alias("course_title"),
+                        (F.col("l_quantity") / 10.0).alias("earned_credits"),
+                        F.col("l_returnflag").alias("final_letter_grade_earned"))
+
+    # ---- chart of accounts (part) --------------------------------------------------
+    def _account_dimension(self, name: str) -> DataFrame:
+        dims = {d: (c, m) for d, c, m in ACCOUNT_DIMENSIONS}
+        col, m = dims[name]
+        t = self("nation_tenant").select("tenant_code").distinct()
+        codes = t.select("tenant_code", F.explode(F.sequence(F.lit(0), F.lit(m - 2))).alias("code"))
+        return codes.select(key("tenant_code", F.lit(name), "code").alias(f"k_{name}_dimension"),
+                            F.col("code").cast("string").alias(f"{name}_dimension_code"),
+                            F.concat(F.lit(name.replace("_", " ").title() + " "), F.col("code").cast("string"))
+                            .alias(f"{name}_dimension_code_name"))
+
+    def _stg_ef3__chart_of_accounts(self) -> DataFrame:
+        p = self("part_home")
+        cols = [key("tenant_code", F.lit(d), _mod(c, m)).alias(f"k_{d}_dimension") for d, c, m in ACCOUNT_DIMENSIONS]
+        return p.select("tenant_code", F.lit(SCHOOL_YEAR).alias("fiscal_year"),
+                        key("tenant_code", F.lit("coa"), "p_partkey").alias("k_chart_of_account"),
+                        F.col("p_partkey").cast("string").alias("chart_of_account_identifier"),
+                        F.col("p_name").alias("chart_of_account_name"),
+                        key("tenant_code", "home_school_id").alias("k_school"), *cols)
+
+    # ---- education service centers (region) ------------------------------------------
+    def _stg_ef3__education_service_centers(self) -> DataFrame:
+        r = self.t("region").select("r_regionkey", F.col("r_name").alias("tenant_code"))
+        return r.select("tenant_code", key("tenant_code", F.lit("esc")).alias("k_esc"),
+                        F.col("r_regionkey").cast("string").alias("esc_id"),
+                        F.concat(F.initcap("tenant_code"), F.lit(" Service Center")).alias("esc_name"))
+
+    def _stg_ef3__education_service_centers__addresses(self) -> DataFrame:
+        r = self.t("region").select("r_regionkey", F.col("r_name").alias("tenant_code"))
+        types = F.when(_mod("r_regionkey", 2) == 0, F.array(F.lit("Mailing"), F.lit("Physical"))).otherwise(
+            F.array(F.lit("Mailing"), F.lit("Billing")))
+        x = r.select("*", F.explode(types).alias("address_type"))
+        return x.select(key("tenant_code", F.lit("esc")).alias("k_esc"), "address_type",
+                        F.concat(F.col("address_type"), F.lit(" Way "), F.col("r_regionkey").cast("string"))
+                        .alias("street_address"))
+
+    def _stg_ef3__fund_dimensions(self) -> DataFrame:
+        return self._account_dimension("fund")
+
+    def _stg_ef3__function_dimensions(self) -> DataFrame:
+        return self._account_dimension("function")
+
+    def _stg_ef3__object_dimensions(self) -> DataFrame:
+        return self._account_dimension("object")
+
+    def _stg_ef3__program_dimensions(self) -> DataFrame:
+        return self._account_dimension("program")
+
+    def _stg_ef3__project_dimensions(self) -> DataFrame:
+        return self._account_dimension("project")
+
+    def _stg_ef3__source_dimensions(self) -> DataFrame:
+        return self._account_dimension("source")
+
+    def _stg_ef3__operational_unit_dimensions(self) -> DataFrame:
+        return self._account_dimension("operational_unit")
+
+    def _stg_ef3__balance_sheet_dimensions(self) -> DataFrame:
+        return self._account_dimension("balance_sheet")
