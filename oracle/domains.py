@@ -1155,3 +1155,79 @@ LEFT JOIN (SELECT {K('r_name', "'esc'")} AS k_esc,
                   CASE WHEN r_regionkey % 2 = 0 THEN 'Physical' ELSE 'Billing' END || ' Way '
                     || CAST(r_regionkey AS VARCHAR) AS street_address
            FROM region) a ON e.k_esc = a.k_esc""")
+
+# ---------------------------------------------------------------- objective assessments
+cte("o_dim_objective_assessment", f"""
+SELECT {K('a.tenant_code', "'ASMT'", 'a.assessment_identifier', 'c.code')} AS k_objective_assessment, a.k_assessment,
+       a.tenant_code, a.api_year AS school_year, a.assessment_identifier, a.namespace,
+       c.code AS objective_assessment_identification_code, 'Objective ' || c.code AS objective_assessment_description,
+       a.academic_subject
+FROM stg_assessments a CROSS JOIN (VALUES ('OBJ-A'), ('OBJ-B')) c(code)""", "stg_assessments")
+
+cte("stg_student_objective", f"""
+SELECT o.tenant_code, o.school_year, {K('o.tenant_code', 'o.o_orderkey', 'c.code')} AS k_student_objective_assessment,
+       {K('o.tenant_code', "'ASMT'", 'o.o_orderpriority', 'c.code')} AS k_objective_assessment,
+       {K('o.tenant_code', 'o.o_orderkey')} AS k_student_assessment,
+       {K('o.tenant_code', "'ASMT'", 'o.o_orderpriority')} AS k_assessment,
+       {K('o.tenant_code', 'o.o_custkey', 'o.school_year')} AS k_student, {K('o.tenant_code', 'o.o_custkey')} AS k_student_xyear,
+       o.o_orderpriority AS assessment_identifier, 'uri://rollcall.example/assessment' AS namespace,
+       c.code AS objective_assessment_identification_code, o.begin_date AS administration_date,
+       o.o_totalprice, o.o_orderkey
+FROM orders_home o CROSS JOIN (VALUES ('OBJ-A'), ('OBJ-B')) c(code)""", "orders_home")
+
+cte("o_obj_long", """
+WITH stacked AS (
+  SELECT tenant_code, k_student_objective_assessment, assessment_identifier, namespace,
+         objective_assessment_identification_code, 'Raw Score' AS score_name,
+         CAST(CAST(floor(o_totalprice) AS BIGINT) % 100 AS VARCHAR) AS score_result
+  FROM stg_student_objective
+  UNION ALL
+  SELECT tenant_code, k_student_objective_assessment, assessment_identifier, namespace,
+         objective_assessment_identification_code, 'Mastery', CASE WHEN o_orderkey % 2 = 0 THEN 'Y' ELSE 'N' END
+  FROM stg_student_objective
+  UNION ALL
+  SELECT tenant_code, k_student_objective_assessment, assessment_identifier, namespace,
+         objective_assessment_identification_code, 'Objective Level',
+         CASE WHEN objective_assessment_identification_code = 'OBJ-A' THEN 'Met' ELSE 'Not Met' END
+  FROM stg_student_objective
+), deduped AS (
+  SELECT * FROM stacked
+  QUALIFY row_number() OVER (PARTITION BY k_student_objective_assessment, score_name
+                             ORDER BY score_result DESC NULLS FIRST) = 1
+)
+SELECT d.tenant_code, d.k_student_objective_assessment, d.score_name AS original_score_name,
+       coalesce(x.n, 'other') AS normalized_score_name, d.score_result
+FROM deduped d
+LEFT JOIN (VALUES ('1-URGENT', 'uri://rollcall.example/assessment', 'OBJ-A', 'Raw Score', 'raw_score'),
+                  ('2-HIGH', 'uri://rollcall.example/assessment', 'OBJ-A', 'Raw Score', 'raw_score'),
+                  ('1-URGENT', 'uri://rollcall.example/assessment', 'OBJ-B', 'Objective Level', 'performance_level'))
+     x(i, ns, c, s, n)
+  ON d.assessment_identifier = x.i AND d.namespace = x.ns AND d.objective_assessment_identification_code = x.c
+ AND d.score_name = x.s""", "stg_student_objective")
+
+cte("o_fct_student_objective", """
+SELECT a.k_student_objective_assessment, a.k_objective_assessment, a.k_student_assessment, a.k_assessment,
+       s.k_student, a.k_student_xyear, a.tenant_code, a.school_year, a.administration_date,
+       w.performance_level, w.raw_score, o.v_other_results
+FROM stg_student_objective a
+LEFT JOIN o_dim_student s ON a.k_student = s.k_student
+LEFT JOIN (SELECT k_student_objective_assessment,
+                  max(CASE WHEN normalized_score_name = 'performance_level' THEN score_result END) AS performance_level,
+                  max(CASE WHEN normalized_score_name = 'raw_score' THEN score_result END) AS raw_score
+           FROM o_obj_long WHERE normalized_score_name <> 'other' GROUP BY 1) w
+  ON a.k_student_objective_assessment = w.k_student_objective_assessment
+LEFT JOIN (SELECT k_student_objective_assessment,
+                  array_to_string(list_sort(list(original_score_name || '=' || score_result)), ',') AS v_other_results
+           FROM o_obj_long WHERE normalized_score_name = 'other' GROUP BY 1) o
+  ON a.k_student_objective_assessment = o.k_student_objective_assessment
+WHERE a.k_student_xyear IN (SELECT k_student_xyear FROM o_dim_student)""",
+    "stg_student_objective", "o_dim_student", "o_obj_long")
+
+cte("o_dq_d9", """
+SELECT DISTINCT f.tenant_code, f.school_year, d.assessment_identifier, d.objective_assessment_identification_code
+FROM o_fct_student_objective f
+JOIN o_dim_objective_assessment d ON f.k_objective_assessment = d.k_objective_assessment
+WHERE NOT EXISTS (SELECT 1 FROM (VALUES ('1-URGENT', 'OBJ-A'), ('2-HIGH', 'OBJ-A'), ('1-URGENT', 'OBJ-B')) x(i, c)
+                  WHERE x.i = d.assessment_identifier AND x.c = d.objective_assessment_identification_code
+                    AND d.namespace = 'uri://rollcall.example/assessment')""",
+    "o_fct_student_objective", "o_dim_objective_assessment")

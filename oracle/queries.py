@@ -136,3 +136,7 @@ final("dq_d2_assessments_without_score_mapping", "o_dq_d2", bigint=("school_year
 final("ds_fct_course_transcripts", "o_fct_transcripts", bigint=("school_year",))
 final("ds_dim_chart_of_account", "o_dim_chart_of_account", bigint=("fiscal_year",))
 final("ds_dim_esc", "o_dim_esc")
+final("ds_dim_objective_assessment", "o_dim_objective_assessment", bigint=("school_year",))
+final("ds_student_objective_assessments_long_results", "o_obj_long")
+final("ds_fct_student_objective_assessment", "o_fct_student_objective", bigint=("school_year",))
+final("dq_d9_objective_assessments_without_score_mapping", "o_dq_d9", bigint=("school_year",))

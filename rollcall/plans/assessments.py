@@ -112,3 +112,56 @@ def fct_student_assessment(wh) -> DataFrame:
     return j.select("k_student_assessment", "k_assessment", F.col("__dim_student").alias("k_student"),
                     "k_student_xyear", "tenant_code", "student_assessment_identifier", "school_year",
                     "administration_date", "when_assessed_grade_level", *names, "v_other_results")
+
+
+_OBJ_KEY = ["assessment_identifier", "namespace", "objective_assessment_identification_code"]
+
+
+@dataset("dim_objective_assessment", grain=("k_objective_assessment",), domain="assessment")
+def dim_objective_assessment(wh) -> DataFrame:
+    """Objective assessments with their parent assessment key, one row per key."""
+    o = wh("stg_ef3__objective_assessments")
+    o = deduplicate(o, ["k_objective_assessment"], [F.col("tenant_code").asc_nulls_last(),
+                                                    F.col("api_year").asc_nulls_last()])
+    return o.select("k_objective_assessment", "k_assessment", "tenant_code", F.col("api_year").alias("school_year"),
+                    *_OBJ_KEY, "objective_assessment_description", "academic_subject")
+
+
+@dataset("bld_student_objective_assessments_long_results",
+         grain=("k_student_objective_assessment", "original_score_name"), domain="assessment")
+def student_objective_assessments_long_results(wh) -> DataFrame:
+    """Scores and levels stacked, highest (text) result per name,
+    normalized through a crosswalk keyed on four columns (no wildcard)."""
+    cols = ["tenant_code", "k_student_objective_assessment", *_OBJ_KEY, "score_name", "score_result"]
+    sr = wh("stg_ef3__student_objective_assessments__score_results").select(*cols)
+    pl = wh("stg_ef3__student_objective_assessments__performance_levels").select(
+        *cols[:5], F.col("performance_level_name").alias("score_name"),
+        F.col("performance_level_result").alias("score_result"))
+    d = deduplicate(sr.unionByName(pl), ["k_student_objective_assessment", "score_name"],
+                    [F.col("score_result").desc_nulls_first()])
+    xw = seed(wh("xwalk_objective_assessment_scores")).withColumnRenamed("original_score_name", "score_name")
+    j = d.join(xw, [*_OBJ_KEY, "score_name"], "left")
+    return j.select("tenant_code", "k_student_objective_assessment", F.col("score_name").alias("original_score_name"),
+                    F.coalesce("normalized_score_name", F.lit("other")).alias("normalized_score_name"),
+                    "score_result")
+
+
+@dataset("fct_student_objective_assessment", grain=("k_student_objective_assessment",), domain="assessment")
+def fct_student_objective_assessment(wh) -> DataFrame:
+    """Wide normalized scores, other scores in a map, students
+    ever known only, one row per key."""
+    sa = wh("stg_ef3__student_objective_assessments")
+    long = wh.table("bld_student_objective_assessments_long_results")
+    names = crosswalk_values(wh("xwalk_objective_assessment_scores"), "normalized_score_name")
+    wide = pivot_values(long.filter(F.col("normalized_score_name") != "other"), ["k_student_objective_assessment"],
+                        "normalized_score_name", names, "score_result", agg="max")
+    other = (long.filter(F.col("normalized_score_name") == "other").groupBy("k_student_objective_assessment")
+             .agg(map_agg("original_score_name", "score_result").alias("v_other_results")))
+    stu = wh("dim_student")
+    j = (sa.join(stu.select("k_student_xyear").distinct(), "k_student_xyear", "left_semi")
+         .join(stu.select(F.col("k_student").alias("__dim_student")), sa.k_student == F.col("__dim_student"), "left")
+         .join(wide, "k_student_objective_assessment", "left").join(other, "k_student_objective_assessment", "left"))
+    j = deduplicate(j, ["k_student_objective_assessment"], [F.col("school_year").desc_nulls_first()])
+    return j.select("k_student_objective_assessment", "k_objective_assessment", "k_student_assessment",
+                    "k_assessment", F.col("__dim_student").alias("k_student"), "k_student_xyear", "tenant_code",
+                    "school_year", "administration_date", *names, "v_other_results")

@@ -83,6 +83,8 @@ ACCOUNT_DIMENSIONS = [
     ("project", "p_size", 3), ("source", "p_size", 4), ("operational_unit", "p_size", 6),
     ("balance_sheet", "p_size", 9),
 ]
+# fixed values: objective codes of every assessment
+OBJECTIVE_CODES = ["OBJ-A", "OBJ-B"]
 # fixed values: races by c_custkey % 5 (index 4 = no race rows)
 RACES_BY_KEY = [["White"], ["Black - African American"], ["White", "Asian"], ["Asian"], []]
 
@@ -1170,3 +1172,49 @@ class Staging:
 
     def _stg_ef3__balance_sheet_dimensions(self) -> DataFrame:
         return self._account_dimension("balance_sheet")
+
+    # ---- objective assessments (orders) ------------------------------------------------
+    def _stg_ef3__objective_assessments(self) -> DataFrame:
+        a = self("stg_ef3__assessments").select("tenant_code", "api_year", "k_assessment", "assessment_identifier",
+                                                "namespace", "academic_subject")
+        x = a.select("*", F.explode(F.array(*[F.lit(c) for c in OBJECTIVE_CODES])).alias("objective_assessment_identification_code"))
+        return x.select("*", key("tenant_code", F.lit("ASMT"), "assessment_identifier",
+                                 "objective_assessment_identification_code").alias("k_objective_assessment"),
+                        F.concat(F.lit("Objective "), F.col("objective_assessment_identification_code"))
+                        .alias("objective_assessment_description"))
+
+    def _stg_ef3__student_objective_assessments(self) -> DataFrame:
+        o = self("orders_home")
+        x = o.select("*", F.explode(F.array(*[F.lit(c) for c in OBJECTIVE_CODES])).alias("code"))
+        return x.select("tenant_code", "school_year",
+                        key("tenant_code", "o_orderkey", "code").alias("k_student_objective_assessment"),
+                        key("tenant_code", F.lit("ASMT"), "o_orderpriority", "code").alias("k_objective_assessment"),
+                        key("tenant_code", "o_orderkey").alias("k_student_assessment"),
+                        key("tenant_code", F.lit("ASMT"), "o_orderpriority").alias("k_assessment"),
+                        key("tenant_code", "o_custkey", "school_year").alias("k_student"),
+                        key("tenant_code", "o_custkey").alias("k_student_xyear"),
+                        F.col("o_orderpriority").alias("assessment_identifier"),
+                        F.lit(ASSESSMENT_NAMESPACE).alias("namespace"),
+                        F.col("code").alias("objective_assessment_identification_code"),
+                        F.col("begin_date").alias("administration_date"))
+
+    def _stg_ef3__student_objective_assessments__score_results(self) -> DataFrame:
+        s = self("stg_ef3__student_objective_assessments")
+        o = self("orders_home").select(key("tenant_code", "o_orderkey").alias("k_student_assessment"), "o_totalprice",
+                                       "o_orderkey")
+        j = s.join(o, "k_student_assessment")
+        res = F.explode(F.array(
+            F.struct(F.lit("Raw Score").alias("n"), _mod(F.floor("o_totalprice"), 100).cast("string").alias("r")),
+            F.struct(F.lit("Mastery").alias("n"), F.when(_mod("o_orderkey", 2) == 0, "Y").otherwise("N").alias("r"))))
+        x = j.select("*", res.alias("x"))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"), "k_student_objective_assessment",
+                        "assessment_identifier", "namespace", "objective_assessment_identification_code",
+                        F.col("x.n").alias("score_name"), F.col("x.r").alias("score_result"))
+
+    def _stg_ef3__student_objective_assessments__performance_levels(self) -> DataFrame:
+        s = self("stg_ef3__student_objective_assessments")
+        return s.select("tenant_code", "k_student_objective_assessment", "assessment_identifier", "namespace",
+                        "objective_assessment_identification_code",
+                        F.lit("Objective Level").alias("performance_level_name"),
+                        F.when(F.col("objective_assessment_identification_code") == "OBJ-A", "Met").otherwise("Not Met")
+                        .alias("performance_level_result"))
