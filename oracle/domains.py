@@ -343,7 +343,7 @@ FROM (
 cte("o_fct_incident_behaviors", f"""
 SELECT {K('b.k_student', 'b.k_discipline_incident', 'lower(b.behavior_type)')} AS k_student_discipline_incident_behavior,
        b.k_student, b.k_student_xyear, b.k_discipline_incident, b.k_school, b.tenant_code, b.school_year,
-       b.behavior_type, x.severity_order,
+       b.incident_id, b.school_id, b.behavior_type, x.severity_order,
        row_number() OVER (PARTITION BY b.k_student, b.k_discipline_incident
                           ORDER BY x.severity_order ASC NULLS LAST, b.behavior_type ASC NULLS LAST) = 1
          AS is_most_severe_behavior
@@ -1231,3 +1231,45 @@ WHERE NOT EXISTS (SELECT 1 FROM (VALUES ('1-URGENT', 'OBJ-A'), ('2-HIGH', 'OBJ-A
                   WHERE x.i = d.assessment_identifier AND x.c = d.objective_assessment_identification_code
                     AND d.namespace = 'uri://rollcall.example/assessment')""",
     "o_fct_student_objective", "o_dim_objective_assessment")
+
+cte("o_actions_summary", """
+WITH link AS (
+  SELECT k_student, k_student_xyear, discipline_action_id, discipline_date, incident_id, school_id,
+         link_behavior_type AS behavior_type
+  FROM stg_discipline_actions
+), arrays AS (
+  SELECT l.k_student, l.k_student_xyear, l.discipline_action_id, l.discipline_date,
+         list_sort(list(b.behavior_type)) AS behavior_types_array,
+         list_sort(list(DISTINCT b.incident_id)) AS incident_id_array
+  FROM link l JOIN o_fct_incident_behaviors b
+    ON l.k_student = b.k_student AND l.k_student_xyear = b.k_student_xyear AND l.school_id = b.school_id
+   AND l.incident_id = b.incident_id AND coalesce(l.behavior_type, '1') =
+       CASE WHEN l.behavior_type IS NULL THEN '1' ELSE b.behavior_type END
+  GROUP BY 1, 2, 3, 4
+), acts AS (
+  SELECT k_student, k_student_xyear, k_discipline_actions_event, list_sort(list(discipline_action)) AS discipline_actions_array
+  FROM o_fct_discipline_actions GROUP BY 1, 2, 3
+)
+SELECT a.k_student, a.k_student_xyear, a.k_discipline_actions_event, a.tenant_code, a.school_year,
+       ar.behavior_types_array, ar.incident_id_array, ac.discipline_actions_array,
+       CASE WHEN b.severity_order IS NOT NULL AND a.severity_order IS NOT NULL THEN b.behavior_type END
+         AS most_severe_behavior_type,
+       CASE WHEN b.severity_order IS NOT NULL AND a.severity_order IS NOT NULL THEN a.discipline_action END
+         AS most_severe_discipline_action
+FROM o_fct_discipline_actions a
+LEFT JOIN link l
+  ON a.k_student = l.k_student AND a.k_student_xyear = l.k_student_xyear
+ AND a.discipline_action_id = l.discipline_action_id AND a.discipline_date = l.discipline_date
+LEFT JOIN o_fct_incident_behaviors b
+  ON l.k_student = b.k_student AND l.k_student_xyear = b.k_student_xyear AND l.school_id = b.school_id
+ AND l.incident_id = b.incident_id AND coalesce(l.behavior_type, '1') =
+     CASE WHEN l.behavior_type IS NULL THEN '1' ELSE b.behavior_type END
+JOIN acts ac ON a.k_student = ac.k_student AND a.k_student_xyear = ac.k_student_xyear
+            AND a.k_discipline_actions_event = ac.k_discipline_actions_event
+LEFT JOIN arrays ar ON a.k_student = ar.k_student AND a.k_student_xyear = ar.k_student_xyear
+                   AND a.discipline_action_id = ar.discipline_action_id AND a.discipline_date = ar.discipline_date
+QUALIFY row_number() OVER (PARTITION BY a.k_student, a.k_discipline_actions_event
+                           ORDER BY a.severity_order DESC NULLS LAST, b.severity_order DESC NULLS LAST,
+                                    a.discipline_action ASC NULLS LAST, b.behavior_type ASC NULLS LAST,
+                                    l.incident_id ASC NULLS LAST) = 1""",
+    "stg_discipline_actions", "o_fct_incident_behaviors", "o_fct_discipline_actions")

@@ -140,3 +140,5 @@ final("ds_dim_objective_assessment", "o_dim_objective_assessment", bigint=("scho
 final("ds_student_objective_assessments_long_results", "o_obj_long")
 final("ds_fct_student_objective_assessment", "o_fct_student_objective", bigint=("school_year",))
 final("dq_d9_objective_assessments_without_score_mapping", "o_dq_d9", bigint=("school_year",))
+final("ds_fct_student_discipline_actions_summary", "o_actions_summary", bigint=("school_year",),
+      lists=("behavior_types_array", "incident_id_array", "discipline_actions_array"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import descriptor_short
 from ..functions.keys import surrogate_key
-from ..operators.dedupe import flag_first
+from ..operators.dedupe import deduplicate, flag_first
 from ..operators.joins import seed, wildcard_condition
 from ..operators.sets import sorted_array, sorted_distinct_array
 from .registry import dataset
@@ -108,4 +108,53 @@ def fct_student_discipline_incident_behaviors(wh) -> DataFrame:
     return j.select(surrogate_key("k_student", "k_discipline_incident", F.lower("behavior_type"))
                     .alias("k_student_discipline_incident_behavior"),
                     "k_student", "k_student_xyear", "k_discipline_incident", "k_school", "tenant_code",
-                    "school_year", "behavior_type", "severity_order", "is_most_severe_behavior")
+                    "school_year", "incident_id", "school_id", "behavior_type", "severity_order",
+                    "is_most_severe_behavior")
+
+
+@dataset("fct_student_discipline_actions_summary", domain="discipline",
+         grain=("k_student", "k_discipline_actions_event"))
+def fct_student_discipline_actions_summary(wh) -> DataFrame:
+    """Per action event: its behaviors and incidents (A11 A12, through the link
+    with an optional behavior type, J11 J15), its actions, and the most severe
+    action/behavior pair, reported only when both severities are known (W1)."""
+    link = wh("stg_ef3__discipline_actions__student_discipline_incident_behaviors").drop("tenant_code")
+    beh = wh("fct_student_discipline_incident_behaviors").select(
+        F.col("k_student").alias("__b_student"), F.col("k_student_xyear").alias("__b_xyear"),
+        F.col("school_id").alias("__b_school"), F.col("incident_id").alias("__b_incident"),
+        F.col("behavior_type").alias("__b_type"), F.col("severity_order").alias("__b_sev"))
+
+    def link_cond(l, b):
+        return ((l.k_student == b.__b_student) & (l.k_student_xyear == b.__b_xyear) & (l.school_id == b.__b_school)
+                & (l.incident_id == b.__b_incident) & (l.behavior_type.isNull() | (l.behavior_type == b.__b_type)))
+
+    arrays = (link.join(beh, link_cond(link, beh))
+              .groupBy("k_student", "k_student_xyear", "discipline_action_id", "discipline_date")
+              .agg(sorted_array("__b_type").alias("behavior_types_array"),
+                   sorted_distinct_array("__b_incident").alias("incident_id_array")))
+    act = wh("fct_student_discipline_actions")
+    acts = act.groupBy("k_student", "k_student_xyear", "k_discipline_actions_event").agg(
+        sorted_array("discipline_action").alias("discipline_actions_array"))
+    a = act.select("k_student", "k_student_xyear", "k_discipline_actions_event", "tenant_code", "school_year",
+                   "discipline_action_id", "discipline_date", "discipline_action", "severity_order")
+    ln = link.select(F.col("k_student").alias("__l_student"), F.col("k_student_xyear").alias("__l_xyear"),
+                     F.col("discipline_action_id").alias("__l_action"), F.col("discipline_date").alias("__l_date"),
+                     "incident_id", "school_id", "behavior_type", F.col("k_student").alias("k_student"),
+                     F.col("k_student_xyear").alias("k_student_xyear")).drop("k_student", "k_student_xyear")
+    j = a.join(ln, (a.k_student == ln.__l_student) & (a.k_student_xyear == ln.__l_xyear)
+               & (a.discipline_action_id == ln.__l_action) & (a.discipline_date == ln.__l_date), "left")
+    j = j.join(beh, (j.__l_student == beh.__b_student) & (j.__l_xyear == beh.__b_xyear) & (j.school_id == beh.__b_school)
+               & (j.incident_id == beh.__b_incident) & (j.behavior_type.isNull() | (j.behavior_type == beh.__b_type)),
+               "left")
+    j = (j.join(acts, ["k_student", "k_student_xyear", "k_discipline_actions_event"])
+         .join(arrays, ["k_student", "k_student_xyear", "discipline_action_id", "discipline_date"], "left"))
+    both = F.col("__b_sev").isNotNull() & F.col("severity_order").isNotNull()
+    j = j.withColumn("most_severe_behavior_type", F.when(both, F.col("__b_type"))) \
+         .withColumn("most_severe_discipline_action", F.when(both, F.col("discipline_action")))
+    j = deduplicate(j, ["k_student", "k_discipline_actions_event"], [
+        F.col("severity_order").desc_nulls_last(), F.col("__b_sev").desc_nulls_last(),
+        F.col("discipline_action").asc_nulls_last(), F.col("__b_type").asc_nulls_last(),
+        F.col("incident_id").asc_nulls_last()])
+    return j.select("k_student", "k_student_xyear", "k_discipline_actions_event", "tenant_code", "school_year",
+                    "behavior_types_array", "incident_id_array", "discipline_actions_array",
+                    "most_severe_behavior_type", "most_severe_discipline_action")

@@ -1218,3 +1218,8 @@ class Staging:
                         F.lit("Objective Level").alias("performance_level_name"),
                         F.when(F.col("objective_assessment_identification_code") == "OBJ-A", "Met").otherwise("Not Met")
                         .alias("performance_level_result"))
+
+    def _stg_ef3__discipline_actions__student_discipline_incident_behaviors(self) -> DataFrame:
+        a = self("stg_ef3__discipline_actions")
+        return a.select("tenant_code", "k_student", "k_student_xyear", "discipline_action_id", "discipline_date",
+                        "incident_id", "school_id", F.col("link_behavior_type").alias("behavior_type"))
