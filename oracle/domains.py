@@ -1273,3 +1273,31 @@ QUALIFY row_number() OVER (PARTITION BY a.k_student, a.k_discipline_actions_even
                                     a.discipline_action ASC NULLS LAST, b.behavior_type ASC NULLS LAST,
                                     l.incident_id ASC NULLS LAST) = 1""",
     "stg_discipline_actions", "o_fct_incident_behaviors", "o_fct_discipline_actions")
+
+cte("o_program_cte", _program_flags("cte", ("1-URGENT", "2-HIGH"), ""), "stg_prog_assoc")
+cte("o_program_food_service", _program_flags(
+    "food_service", ("5-LOW",), ", max(participation_status) AS participation_status"), "stg_prog_assoc")
+cte("o_program_language_instruction", _program_flags("language_instruction", ("3-MEDIUM",), ""), "stg_prog_assoc")
+cte("o_program_migrant_education", _program_flags("migrant_education", ("4-NOT SPECIFIED", "5-LOW"), ""),
+    "stg_prog_assoc")
+
+cte("o_wide_ids_student", f"""
+SELECT tenant_code, 2024 AS api_year, {K('tenant_code', 'c_custkey', '2024')} AS k_student,
+       {K('tenant_code', 'c_custkey')} AS k_student_xyear, CAST(home_school_id AS VARCHAR) AS ed_org_id,
+       'D' || CAST(c_custkey AS VARCHAR) AS district_student_id, 'ST' || CAST(c_custkey AS VARCHAR) AS state_student_id
+FROM customer_home""", "customer_home")
+
+cte("o_wide_ids_staff", f"""
+SELECT tenant_code, 2024 AS api_year, {K('tenant_code', 'staff_unique_id')} AS k_staff,
+       'Di' || staff_unique_id AS district_staff_id, 'St' || staff_unique_id AS state_staff_id
+FROM staff_home""", "staff_home")
+
+cte("o_staff_race", f"""
+SELECT {K('tenant_code', 'staff_unique_id')} AS k_staff,
+       CASE WHEN c_custkey % 3 = 0 THEN ['Asian', 'White'] ELSE ['Black - African American'] END AS race_array,
+       CASE WHEN c_custkey % 9 = 0 THEN 'Latinx' WHEN c_custkey % 3 = 0 THEN 'Multiple'
+            ELSE 'Black - African American' END AS race_ethnicity
+FROM staff_home WHERE c_custkey % 3 IN (0, 1)""", "staff_home")
+cte("o_program_special_education", _program_flags(
+    "special_education", ("__none__",), ", bool_or(is_served_outside_regular_session) AS is_served_outside_regular_session"),
+    "stg_prog_assoc")

@@ -142,3 +142,11 @@ final("ds_fct_student_objective_assessment", "o_fct_student_objective", bigint=(
 final("dq_d9_objective_assessments_without_score_mapping", "o_dq_d9", bigint=("school_year",))
 final("ds_fct_student_discipline_actions_summary", "o_actions_summary", bigint=("school_year",),
       lists=("behavior_types_array", "incident_id_array", "discipline_actions_array"))
+final("ds_student_program__cte", "o_program_cte")
+final("ds_student_program__food_service", "o_program_food_service")
+final("ds_student_program__language_instruction", "o_program_language_instruction")
+final("ds_student_program__migrant_education", "o_program_migrant_education")
+final("ds_wide_ids_student", "o_wide_ids_student", bigint=("api_year",))
+final("ds_wide_ids_staff", "o_wide_ids_staff", bigint=("api_year",))
+final("ds_staff_race_ethnicity", "o_staff_race", lists=("race_array",))
+final("ds_student_program__special_education", "o_program_special_education")

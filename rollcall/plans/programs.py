@@ -73,6 +73,17 @@ PROGRAMS = {
     "title_i_part_a": ProgramSpec(name="title_i_part_a", source="stg_ef3__student_program_associations",
                                   excluded_program_names=("1-URGENT",),
                                   custom_aggregates=(("n_title_i_enrollments", "count(*)"),)),
+    "cte": ProgramSpec(name="cte", source="stg_ef3__student_program_associations",
+                       excluded_program_names=("1-URGENT", "2-HIGH")),
+    "food_service": ProgramSpec(name="food_service", source="stg_ef3__student_program_associations",
+                                excluded_program_names=("5-LOW",), attribute_columns=("participation_status",)),
+    "language_instruction": ProgramSpec(name="language_instruction", source="stg_ef3__student_program_associations",
+                                        excluded_program_names=("3-MEDIUM",)),
+    "migrant_education": ProgramSpec(name="migrant_education", source="stg_ef3__student_program_associations",
+                                     excluded_program_names=("4-NOT SPECIFIED", "5-LOW")),
+    "special_education": ProgramSpec(name="special_education", source="stg_ef3__student_program_associations",
+                                     excluded_program_names=(),
+                                     attribute_columns=("is_served_outside_regular_session",)),
 }
 
 
@@ -104,6 +115,12 @@ def student_program_title_i(wh) -> DataFrame:
     return program_flags(wh, PROGRAMS["title_i_part_a"])
 
 
+for _name in ("cte", "food_service", "language_instruction", "migrant_education", "special_education"):
+    def _builder(wh, _spec=PROGRAMS[_name]) -> DataFrame:
+        return program_flags(wh, _spec)
+    dataset(f"bld_student_program__{_name}", grain=("k_student",))(_builder)
+
+
 @dataset("bld_student_program__program_services", grain=("k_student_program",))
 def program_services(wh) -> DataFrame:
     """Sorted service list per program enrollment."""

@@ -161,3 +161,29 @@ def fct_staff_school_association(wh) -> DataFrame:
     active = F.col("__latest") & (F.col("end_date").isNull() | (F.col("end_date") >= today)) & (
         F.col("begin_date") <= today)
     return j.withColumn("is_active_assignment", iff(active, True, False)).drop("__latest")
+
+
+@dataset("bld_wide_ids_staff", grain=("tenant_code", "api_year", "k_staff"))
+def wide_ids_staff(wh) -> DataFrame:
+    """Staff identification codes pivoted to ``{id_name}_staff_id``."""
+    from ..operators.joins import seed
+    from ..operators.reshape import crosswalk_values, pivot_values
+    xw = seed(wh("xwalk_id_types_staff"))
+    ids = wh("stg_ef3__staffs__identification_codes").join(xw, "id_system")
+    return pivot_values(ids, ["tenant_code", "api_year", "k_staff"], "id_name", crosswalk_values(xw, "id_name"),
+                        "id_code", agg="min", suffix="_staff_id")
+
+
+@dataset("bld_staff_race_ethnicity", grain=("k_staff",))
+def staff_race_ethnicity(wh) -> DataFrame:
+    """Race array and label; unlike students, staff without race
+    rows drop (inner join)."""
+    from ..functions.columns import race_label
+    from ..operators.sets import sorted_array
+    cfg = wh.config
+    r = wh("stg_ef3__staffs__races").groupBy("k_staff").agg(
+        sorted_array("race").alias("race_array"), F.max("has_hispanic_latino_ethnicity").alias("__h"))
+    j = wh("stg_ef3__staffs").select("k_staff").join(r, "k_staff")
+    return j.select("k_staff", "race_array",
+                    race_label("__h", "race_array", cfg.hispanic_code, cfg.race_multiple_code, cfg.race_unknown_code)
+                    .alias("race_ethnicity"))

@@ -134,3 +134,12 @@ def student_indicators(wh) -> DataFrame:
                         names, "indicator_value", agg="max")
     types = {r[0]: r[1] for r in xw.select("dim_stu_name", "type").distinct().limit(5001).collect()}
     return cast_by_type(wide, types)
+
+
+@dataset("bld_wide_ids_student", grain=("k_student", "ed_org_id"))
+def wide_ids_student(wh) -> DataFrame:
+    """Student identification codes pivoted to ``{id_name}_student_id``."""
+    xw = seed(wh("xwalk_id_types_student"))
+    ids = wh("stg_ef3__stu_ed_org__identification_codes").join(xw, "id_system")
+    return pivot_values(ids, ["tenant_code", "api_year", "k_student", "k_student_xyear", "ed_org_id"], "id_name",
+                        crosswalk_values(xw, "id_name"), "id_code", agg="min", suffix="_student_id")

@@ -131,6 +131,10 @@ OBJECTIVE_ASSESSMENT_SCORES = [
     ("1-URGENT", "uri://rollcall.example/assessment", "OBJ-B", "Objective Level", "performance_level"),
 ]
 
+# fixed values: student and staff identification systems -> column stems
+ID_TYPES_STUDENT = [("State", "state"), ("District", "district")]
+ID_TYPES_STAFF = [("State", "state"), ("District", "district")]
+
 # fixed values: student characteristic descriptors -> indicator column names
 STUDENT_CHARACTERISTICS = [
     ("Economic Disadvantaged", "is_economic_disadvantaged"),
@@ -149,6 +153,8 @@ _SCHEMAS = {
     "xwalk_subgroup_value_display_names": "subgroup_category string, subgroup_value string, subgroup_value_display_name string",
     "xwalk_student_programs": "program_name string, indicator_name string, is_active boolean, is_annual boolean, is_ever boolean",
     "xwalk_discipline_behaviors": "behavior_type string, severity_order int",
+    "xwalk_id_types_student": "id_system string, id_name string",
+    "xwalk_id_types_staff": "id_system string, id_name string",
     "xwalk_objective_assessment_scores": "assessment_identifier string, namespace string, objective_assessment_identification_code string, original_score_name string, normalized_score_name string",
     "xwalk_network_association_types": "association_type string, network_type string, network_purpose string",
     "xwalk_course_level_characteristics": "characteristic_descriptor string, indicator_name string",
@@ -172,6 +178,8 @@ _ROWS = {
     "xwalk_subgroup_value_display_names": SUBGROUP_VALUE_NAMES,
     "xwalk_student_programs": STUDENT_PROGRAMS,
     "xwalk_discipline_behaviors": DISCIPLINE_BEHAVIORS,
+    "xwalk_id_types_student": ID_TYPES_STUDENT,
+    "xwalk_id_types_staff": ID_TYPES_STAFF,
     "xwalk_objective_assessment_scores": OBJECTIVE_ASSESSMENT_SCORES,
     "xwalk_network_association_types": NETWORK_ASSOCIATION_TYPES,
     "xwalk_course_level_characteristics": COURSE_LEVEL_CHARACTERISTICS,

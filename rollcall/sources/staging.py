@@ -1223,3 +1223,32 @@ class Staging:
         a = self("stg_ef3__discipline_actions")
         return a.select("tenant_code", "k_student", "k_student_xyear", "discipline_action_id", "discipline_date",
                         "incident_id", "school_id", F.col("link_behavior_type").alias("behavior_type"))
+
+    # ---- student and staff identification codes, staff races ------------------------
+    def _stg_ef3__stu_ed_org__identification_codes(self) -> DataFrame:
+        c = self("customer_home")
+        ids = F.filter(F.array(
+            F.struct(F.lit("State").alias("s"), F.concat(F.lit("ST"), F.col("c_custkey").cast("string")).alias("c")),
+            F.struct(F.lit("District").alias("s"), F.concat(F.lit("D"), F.col("c_custkey").cast("string")).alias("c")),
+            F.when(_mod("c_custkey", 3) == 0, F.struct(F.lit("Other").alias("s"), F.lit("X").alias("c")))),
+            lambda x: x.isNotNull())
+        x = c.select("*", F.explode(ids).alias("i"))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "c_custkey", F.lit(SCHOOL_YEAR)).alias("k_student"),
+                        key("tenant_code", "c_custkey").alias("k_student_xyear"),
+                        F.col("home_school_id").cast("string").alias("ed_org_id"),
+                        F.col("i.s").alias("id_system"), F.col("i.c").alias("id_code"))
+
+    def _stg_ef3__staffs__identification_codes(self) -> DataFrame:
+        st = self("staff_home")
+        x = st.select("*", F.explode(F.array(F.lit("State"), F.lit("District"))).alias("id_system"))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "staff_unique_id").alias("k_staff"), "id_system",
+                        F.concat(F.left("id_system", F.lit(2)), F.col("staff_unique_id")).alias("id_code"))
+
+    def _stg_ef3__staffs__races(self) -> DataFrame:
+        st = self("staff_home")
+        races = F.when(_mod("c_custkey", 3) == 0, F.array(F.lit("White"), F.lit("Asian"))).when(
+            _mod("c_custkey", 3) == 1, F.array(F.lit("Black - African American"))).otherwise(F.array().cast("array<string>"))
+        return st.select(key("tenant_code", "staff_unique_id").alias("k_staff"), F.explode(races).alias("race"),
+                         (_mod("c_custkey", 9) == 0).alias("has_hispanic_latino_ethnicity"))
