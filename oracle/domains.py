@@ -1301,3 +1301,82 @@ FROM staff_home WHERE c_custkey % 3 IN (0, 1)""", "staff_home")
 cte("o_program_special_education", _program_flags(
     "special_education", ("__none__",), ", bool_or(is_served_outside_regular_session) AS is_served_outside_regular_session"),
     "stg_prog_assoc")
+
+# ---------------------------------------------------------------- program-specific facts
+cte("o_fct_homeless_program", f"""
+SELECT s.* FROM (
+  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
+         {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
+         {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
+         {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
+         CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
+         o_orderpriority AS program_name, CASE WHEN o_orderkey % 2 = 0 THEN 'Shelters' ELSE 'Doubled-up' END AS homeless_primary_nighttime_residence
+  FROM orders_home WHERE o_orderpriority = '1-URGENT') s
+JOIN o_dim_student d ON s.k_student = d.k_student
+JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
+cte("o_fct_language_instruction_program", f"""
+SELECT s.* FROM (
+  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
+         {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
+         {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
+         {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
+         CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
+         o_orderpriority AS program_name, o_orderkey % 3 = 0 AS has_english_learner_participation
+  FROM orders_home WHERE o_orderpriority = '2-HIGH') s
+JOIN o_dim_student d ON s.k_student = d.k_student
+JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
+cte("o_fct_special_education_program", f"""
+SELECT s.* FROM (
+  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
+         {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
+         {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
+         {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
+         CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
+         o_orderpriority AS program_name, 'Inside regular class' AS special_education_setting
+  FROM orders_home WHERE o_orderpriority = '3-MEDIUM') s
+JOIN o_dim_student d ON s.k_student = d.k_student
+JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
+cte("o_fct_title_i_part_a_program", f"""
+SELECT s.* FROM (
+  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
+         {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
+         {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
+         {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
+         CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
+         o_orderpriority AS program_name, 'Targeted' AS title_i_part_a_participant_status
+  FROM orders_home WHERE o_orderpriority = '4-NOT SPECIFIED') s
+JOIN o_dim_student d ON s.k_student = d.k_student
+JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
+cte("o_fct_cte_program", f"""
+SELECT s.* FROM (
+  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
+         {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
+         {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
+         {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
+         CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
+         o_orderpriority AS program_name, 'Passed' AS technical_skills_assessment
+  FROM orders_home WHERE o_orderpriority = '5-LOW') s
+JOIN o_dim_student d ON s.k_student = d.k_student
+JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
+cte("o_fct_school_food_service_program", f"""
+SELECT s.* FROM (
+  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
+         {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
+         {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
+         {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
+         CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
+         o_orderpriority AS program_name, 'Yes' AS direct_certification
+  FROM orders_home WHERE o_orderkey % 5 = 0) s
+JOIN o_dim_student d ON s.k_student = d.k_student
+JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
+cte("o_fct_migrant_education_program", f"""
+SELECT s.* FROM (
+  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
+         {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
+         {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
+         {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
+         CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
+         o_orderpriority AS program_name, o_orderkey % 2 = 0 AS priority_for_service
+  FROM orders_home WHERE o_orderkey % 7 = 0) s
+JOIN o_dim_student d ON s.k_student = d.k_student
+JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")

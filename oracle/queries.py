@@ -150,3 +150,11 @@ final("ds_wide_ids_student", "o_wide_ids_student", bigint=("api_year",))
 final("ds_wide_ids_staff", "o_wide_ids_staff", bigint=("api_year",))
 final("ds_staff_race_ethnicity", "o_staff_race", lists=("race_array",))
 final("ds_student_program__special_education", "o_program_special_education")
+
+final("ds_fct_student_homeless_program_association", "o_fct_homeless_program", bigint=("school_year",))
+final("ds_fct_student_language_instruction_program_association", "o_fct_language_instruction_program", bigint=("school_year",))
+final("ds_fct_student_special_education_program_association", "o_fct_special_education_program", bigint=("school_year",))
+final("ds_fct_student_title_i_part_a_program_association", "o_fct_title_i_part_a_program", bigint=("school_year",))
+final("ds_fct_student_cte_program_association", "o_fct_cte_program", bigint=("school_year",))
+final("ds_fct_student_school_food_service_program_association", "o_fct_school_food_service_program", bigint=("school_year",))
+final("ds_fct_student_migrant_education_program_association", "o_fct_migrant_education_program", bigint=("school_year",))

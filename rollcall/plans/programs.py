@@ -159,3 +159,18 @@ def fct_student_program_participation_status(wh) -> DataFrame:
     frames = [wh(s) for s in PARTICIPATION_SOURCES]
     return union_all(frames, allow_missing=True, source_col="program_source",
                      names=[s.split("__")[1] for s in PARTICIPATION_SOURCES])
+
+
+def _program_association(wh, program: str) -> DataFrame:
+    """A program-specific stage joined to known students and programs."""
+    st = wh(f"stg_ef3__student_{program}_program_associations")
+    j = st.join(wh("dim_student").select("k_student"), "k_student").join(wh("dim_program").select("k_program"),
+                                                                        "k_program")
+    return j
+
+
+for _p in ("homeless", "language_instruction", "special_education", "title_i_part_a", "cte", "school_food_service",
+           "migrant_education"):
+    def _fact(wh, _prog=_p) -> DataFrame:
+        return _program_association(wh, _prog)
+    dataset(f"fct_student_{_p}_program_association", grain=("k_student_program",))(_fact)

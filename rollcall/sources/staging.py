@@ -85,6 +85,17 @@ ACCOUNT_DIMENSIONS = [
 ]
 # fixed values: objective codes of every assessment
 OBJECTIVE_CODES = ["OBJ-A", "OBJ-B"]
+# fixed values: program-specific stages (program, filter on orders, extra column, its expression)
+PROGRAM_STAGES = {
+    "homeless": ("o_orderpriority = '1-URGENT'", "homeless_primary_nighttime_residence",
+                 "CASE WHEN o_orderkey % 2 = 0 THEN 'Shelters' ELSE 'Doubled-up' END"),
+    "language_instruction": ("o_orderpriority = '2-HIGH'", "has_english_learner_participation", "o_orderkey % 3 = 0"),
+    "special_education": ("o_orderpriority = '3-MEDIUM'", "special_education_setting", "'Inside regular class'"),
+    "title_i_part_a": ("o_orderpriority = '4-NOT SPECIFIED'", "title_i_part_a_participant_status", "'Targeted'"),
+    "cte": ("o_orderpriority = '5-LOW'", "technical_skills_assessment", "'Passed'"),
+    "school_food_service": ("o_orderkey % 5 = 0", "direct_certification", "'Yes'"),
+    "migrant_education": ("o_orderkey % 7 = 0", "priority_for_service", "o_orderkey % 2 = 0"),
+}
 # fixed values: races by c_custkey % 5 (index 4 = no race rows)
 RACES_BY_KEY = [["White"], ["Black - African American"], ["White", "Asian"], ["Asian"], []]
 
@@ -1252,3 +1263,38 @@ class Staging:
             _mod("c_custkey", 3) == 1, F.array(F.lit("Black - African American"))).otherwise(F.array().cast("array<string>"))
         return st.select(key("tenant_code", "staff_unique_id").alias("k_staff"), F.explode(races).alias("race"),
                          (_mod("c_custkey", 9) == 0).alias("has_hispanic_latino_ethnicity"))
+
+    # ---- program-specific stages (orders) -----------------------------------------------
+    def program_stage(self, program: str) -> DataFrame:
+        flt, col, expr = PROGRAM_STAGES[program]
+        o = self("orders_home").filter(F.expr(flt))
+        end = F.when(F.col("o_orderstatus") == "F", F.date_add("begin_date", 90))
+        return o.select("tenant_code", "school_year",
+                        key("tenant_code", "o_custkey", "school_year").alias("k_student"),
+                        key("tenant_code", "o_custkey").alias("k_student_xyear"),
+                        key("tenant_code", "o_orderpriority").alias("k_program"),
+                        key("tenant_code", "o_custkey", "o_orderkey").alias("k_student_program"),
+                        key("tenant_code", "home_school_id").alias("k_school"),
+                        F.col("begin_date").alias("program_enroll_begin_date"), end.alias("program_enroll_end_date"),
+                        F.col("o_orderpriority").alias("program_name"), F.expr(expr).alias(col))
+
+    def _stg_ef3__student_homeless_program_associations(self) -> DataFrame:
+        return self.program_stage("homeless")
+
+    def _stg_ef3__student_language_instruction_program_associations(self) -> DataFrame:
+        return self.program_stage("language_instruction")
+
+    def _stg_ef3__student_special_education_program_associations(self) -> DataFrame:
+        return self.program_stage("special_education")
+
+    def _stg_ef3__student_title_i_part_a_program_associations(self) -> DataFrame:
+        return self.program_stage("title_i_part_a")
+
+    def _stg_ef3__student_cte_program_associations(self) -> DataFrame:
+        return self.program_stage("cte")
+
+    def _stg_ef3__student_school_food_service_program_associations(self) -> DataFrame:
+        return self.program_stage("school_food_service")
+
+    def _stg_ef3__student_migrant_education_program_associations(self) -> DataFrame:
+        return self.program_stage("migrant_education")
