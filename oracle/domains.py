@@ -1380,3 +1380,68 @@ SELECT s.* FROM (
   FROM orders_home WHERE o_orderkey % 7 = 0) s
 JOIN o_dim_student d ON s.k_student = d.k_student
 JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
+
+cte("o_incident_summary", """
+WITH link AS (
+  SELECT k_student, k_student_xyear, discipline_action_id, discipline_date, incident_id, school_id,
+         link_behavior_type AS behavior_type
+  FROM stg_discipline_actions
+), dis AS (
+  SELECT k_student, discipline_action_id, discipline_date, first_action AS discipline_type FROM stg_discipline_actions
+  UNION ALL
+  SELECT k_student, discipline_action_id, discipline_date, 'Warning' FROM stg_discipline_actions WHERE has_warning
+), barr AS (
+  SELECT k_student, k_student_xyear, k_discipline_incident, list_sort(list(behavior_type)) AS behavior_types_array
+  FROM o_fct_incident_behaviors GROUP BY 1, 2, 3
+), aarr AS (
+  SELECT l.k_student, l.k_student_xyear, l.incident_id,
+         list_sort(list_distinct(list(d.discipline_type))) AS discipline_actions_array
+  FROM link l JOIN dis d ON l.k_student = d.k_student AND l.discipline_action_id = d.discipline_action_id
+                         AND l.discipline_date = d.discipline_date
+  GROUP BY 1, 2, 3
+)
+SELECT b.k_student, b.k_student_xyear, b.k_discipline_incident, b.tenant_code, b.school_year,
+       ba.behavior_types_array, aa.discipline_actions_array,
+       CASE WHEN b.severity_order IS NOT NULL AND a.severity_order IS NOT NULL THEN b.behavior_type END
+         AS most_severe_behavior_type,
+       CASE WHEN b.severity_order IS NOT NULL AND a.severity_order IS NOT NULL THEN a.discipline_action END
+         AS most_severe_discipline_action
+FROM o_fct_incident_behaviors b
+LEFT JOIN link l
+  ON b.k_student = l.k_student AND b.k_student_xyear = l.k_student_xyear AND b.school_id = l.school_id
+ AND b.incident_id = l.incident_id
+ AND coalesce(l.behavior_type, '1') = CASE WHEN l.behavior_type IS NULL THEN '1' ELSE b.behavior_type END
+LEFT JOIN o_fct_discipline_actions a
+  ON l.k_student = a.k_student AND l.k_student_xyear = a.k_student_xyear
+ AND l.discipline_action_id = a.discipline_action_id AND l.discipline_date = a.discipline_date
+JOIN barr ba ON b.k_student = ba.k_student AND b.k_student_xyear = ba.k_student_xyear
+            AND b.k_discipline_incident = ba.k_discipline_incident
+LEFT JOIN aarr aa ON b.k_student = aa.k_student AND b.k_student_xyear = aa.k_student_xyear
+                 AND b.incident_id = aa.incident_id
+QUALIFY row_number() OVER (PARTITION BY b.k_student, b.k_discipline_incident
+                           ORDER BY a.severity_order DESC NULLS LAST, b.severity_order DESC NULLS LAST,
+                                    b.behavior_type ASC NULLS LAST, a.discipline_action ASC NULLS LAST,
+                                    l.discipline_action_id ASC NULLS LAST) = 1""",
+    "stg_discipline_actions", "o_fct_incident_behaviors", "o_fct_discipline_actions")
+
+cte("o_non_offenders", f"""
+SELECT s.k_student, s.k_student_xyear, s.k_school, s.k_discipline_incident, s.tenant_code, s.school_id, s.incident_id,
+       false AS is_offender, c.codes[1] AS participation_code, c.codes AS participation_codes_array
+FROM (SELECT tenant_code, {K('tenant_code', 'user_id + 7', '2024')} AS k_student,
+             {K('tenant_code', 'user_id + 7')} AS k_student_xyear,
+             {K('tenant_code', 'home_school_id', 'event_id')} AS k_discipline_incident,
+             {K('tenant_code', 'home_school_id')} AS k_school, CAST(home_school_id AS VARCHAR) AS school_id,
+             CAST(event_id AS VARCHAR) AS incident_id, event_id
+      FROM error_events WHERE event_id % 3 = 0) s
+JOIN (SELECT k_student, k_discipline_incident, list_sort(list(code)) AS codes FROM (
+        SELECT {K('tenant_code', 'user_id + 7', '2024')} AS k_student,
+               {K('tenant_code', 'home_school_id', 'event_id')} AS k_discipline_incident, 'Witness' AS code
+        FROM error_events WHERE event_id % 3 = 0
+        UNION ALL
+        SELECT {K('tenant_code', 'user_id + 7', '2024')}, {K('tenant_code', 'home_school_id', 'event_id')}, 'Reporter'
+        FROM error_events WHERE event_id % 3 = 0 AND event_id % 2 = 0) u
+      GROUP BY 1, 2) c ON s.k_student = c.k_student AND s.k_discipline_incident = c.k_discipline_incident
+JOIN o_dim_student d ON s.k_student = d.k_student
+JOIN o_dim_school sc ON s.k_school = sc.k_school
+JOIN o_dim_discipline_incident i ON s.k_discipline_incident = i.k_discipline_incident""",
+    "error_events", "o_dim_student", "o_dim_school", "o_dim_discipline_incident")

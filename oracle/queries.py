@@ -158,3 +158,6 @@ final("ds_fct_student_title_i_part_a_program_association", "o_fct_title_i_part_a
 final("ds_fct_student_cte_program_association", "o_fct_cte_program", bigint=("school_year",))
 final("ds_fct_student_school_food_service_program_association", "o_fct_school_food_service_program", bigint=("school_year",))
 final("ds_fct_student_migrant_education_program_association", "o_fct_migrant_education_program", bigint=("school_year",))
+final("ds_fct_student_discipline_incident_summary", "o_incident_summary", bigint=("school_year",),
+      lists=("behavior_types_array", "discipline_actions_array"))
+final("ds_fct_student_discipline_incident_non_offenders", "o_non_offenders", lists=("participation_codes_array",))

@@ -158,3 +158,66 @@ def fct_student_discipline_actions_summary(wh) -> DataFrame:
     return j.select("k_student", "k_student_xyear", "k_discipline_actions_event", "tenant_code", "school_year",
                     "behavior_types_array", "incident_id_array", "discipline_actions_array",
                     "most_severe_behavior_type", "most_severe_discipline_action")
+
+
+@dataset("fct_student_discipline_incident_summary", domain="discipline",
+         grain=("k_student", "k_discipline_incident"))
+def fct_student_discipline_incident_summary(wh) -> DataFrame:
+    """Per student and incident: behaviors (A11), the distinct actions taken
+    for it (F21 array_distinct, through the link with an optional behavior
+    type, J11), and the most severe pair when both severities are known (W1)."""
+    beh = wh("fct_student_discipline_incident_behaviors")
+    link = wh("stg_ef3__discipline_actions__student_discipline_incident_behaviors").select(
+        F.col("k_student").alias("__l_student"), F.col("k_student_xyear").alias("__l_xyear"),
+        F.col("school_id").alias("__l_school"), F.col("incident_id").alias("__l_incident"),
+        F.col("behavior_type").alias("__l_type"), "discipline_action_id", "discipline_date")
+    dis = wh("stg_ef3__discipline_actions__disciplines")
+    act = wh("fct_student_discipline_actions").select(
+        F.col("k_student").alias("__a_student"), F.col("k_student_xyear").alias("__a_xyear"),
+        F.col("discipline_action_id").alias("__a_action"), F.col("discipline_date").alias("__a_date"),
+        "discipline_action", F.col("severity_order").alias("__a_sev"))
+    barr = beh.groupBy("k_student", "k_student_xyear", "k_discipline_incident").agg(
+        sorted_array("behavior_type").alias("behavior_types_array"))
+    la = link.select("__l_student", "__l_xyear", "__l_incident", "discipline_action_id", "discipline_date")
+    aarr = (la.join(dis, (la.__l_student == dis.k_student) & (la.discipline_action_id == dis.discipline_action_id)
+                    & (la.discipline_date == dis.discipline_date))
+            .groupBy(F.col("__l_student").alias("k_student"), F.col("__l_xyear").alias("k_student_xyear"),
+                     F.col("__l_incident").alias("incident_id"))
+            .agg(F.array_distinct(sorted_array("discipline_type")).alias("discipline_actions_array")))
+    j = beh.join(link, (beh.k_student == link.__l_student) & (beh.k_student_xyear == link.__l_xyear)
+                 & (beh.school_id == link.__l_school) & (beh.incident_id == link.__l_incident)
+                 & (link.__l_type.isNull() | (link.__l_type == beh.behavior_type)), "left")
+    j = j.join(act, (j.__l_student == act.__a_student) & (j.__l_xyear == act.__a_xyear)
+               & (j.discipline_action_id == act.__a_action) & (j.discipline_date == act.__a_date), "left")
+    j = (j.join(barr, ["k_student", "k_student_xyear", "k_discipline_incident"])
+         .join(aarr, ["k_student", "k_student_xyear", "incident_id"], "left"))
+    both = F.col("severity_order").isNotNull() & F.col("__a_sev").isNotNull()
+    j = (j.withColumn("most_severe_behavior_type", F.when(both, F.col("behavior_type")))
+         .withColumn("most_severe_discipline_action", F.when(both, F.col("discipline_action"))))
+    j = deduplicate(j, ["k_student", "k_discipline_incident"], [
+        F.col("__a_sev").desc_nulls_last(), F.col("severity_order").desc_nulls_last(),
+        F.col("behavior_type").asc_nulls_last(), F.col("discipline_action").asc_nulls_last(),
+        F.col("discipline_action_id").asc_nulls_last()])
+    return j.select("k_student", "k_student_xyear", "k_discipline_incident", "tenant_code", "school_year",
+                    "behavior_types_array", "discipline_actions_array", "most_severe_behavior_type",
+                    "most_severe_discipline_action")
+
+
+@dataset("fct_student_discipline_incident_non_offenders", domain="discipline",
+         grain=("k_student", "k_discipline_incident"))
+def fct_student_discipline_incident_non_offenders(wh) -> DataFrame:
+    """Non-offenders of known students, schools and incidents (J1) with their
+    sorted participation codes (A13); the inner join to codes drops people
+    without any code.  The first code is the analytic one."""
+    s = wh("stg_ef3__student_discipline_incident_non_offender_associations")
+    codes = (wh("stg_ef3__student_discipline_incident_non_offender_associations__participation_codes")
+             .groupBy("k_student", "k_student_xyear", "k_discipline_incident")
+             .agg(sorted_array("participation_code").alias("participation_codes_array")))
+    j = (s.join(codes, ["k_student", "k_student_xyear", "k_discipline_incident"])
+         .join(wh("dim_student").select("k_student"), "k_student")
+         .join(wh("dim_school").select("k_school"), "k_school")
+         .join(wh("dim_discipline_incident").select("k_discipline_incident"), "k_discipline_incident"))
+    return j.select("k_student", "k_student_xyear", "k_school", "k_discipline_incident", "tenant_code", "school_id",
+                    "incident_id", F.lit(False).alias("is_offender"),
+                    F.get(F.col("participation_codes_array"), 0).alias("participation_code"),
+                    "participation_codes_array")

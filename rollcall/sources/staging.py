@@ -1298,3 +1298,33 @@ class Staging:
 
     def _stg_ef3__student_migrant_education_program_associations(self) -> DataFrame:
         return self.program_stage("migrant_education")
+
+    def _stg_ef3__discipline_actions__disciplines(self) -> DataFrame:
+        a = self("stg_ef3__discipline_actions")
+        d = F.explode(F.from_json("v_disciplines", "array<struct<disciplineDescriptor:string>>"))
+        x = a.select("k_student", "discipline_action_id", "discipline_date", d.alias("d"))
+        return x.select("k_student", "discipline_action_id", "discipline_date",
+                        F.substring_index(F.col("d.disciplineDescriptor"), "#", -1).alias("discipline_type"))
+
+    def _non_offenders(self) -> DataFrame:
+        return self("error_events").filter(_mod("event_id", 3) == 0).withColumn(
+            "witness", F.col("user_id") + 7)
+
+    def _stg_ef3__student_discipline_incident_non_offender_associations(self) -> DataFrame:
+        e = self("non_offenders")
+        return e.select("tenant_code",
+                        key("tenant_code", "witness", F.lit(SCHOOL_YEAR)).alias("k_student"),
+                        key("tenant_code", "witness").alias("k_student_xyear"),
+                        key("tenant_code", "home_school_id", "event_id").alias("k_discipline_incident"),
+                        key("tenant_code", "home_school_id").alias("k_school"),
+                        F.col("home_school_id").cast("string").alias("school_id"),
+                        F.col("event_id").cast("string").alias("incident_id"))
+
+    def _stg_ef3__student_discipline_incident_non_offender_associations__participation_codes(self) -> DataFrame:
+        e = self("non_offenders")
+        codes = F.when(_mod("event_id", 2) == 0, F.array(F.lit("Witness"), F.lit("Reporter"))).otherwise(
+            F.array(F.lit("Witness")))
+        return e.select(key("tenant_code", "witness", F.lit(SCHOOL_YEAR)).alias("k_student"),
+                        key("tenant_code", "witness").alias("k_student_xyear"),
+                        key("tenant_code", "home_school_id", "event_id").alias("k_discipline_incident"),
+                        F.explode(codes).alias("participation_code"))
