@@ -1445,3 +1445,70 @@ JOIN o_dim_student d ON s.k_student = d.k_student
 JOIN o_dim_school sc ON s.k_school = sc.k_school
 JOIN o_dim_discipline_incident i ON s.k_discipline_incident = i.k_discipline_incident""",
     "error_events", "o_dim_student", "o_dim_school", "o_dim_discipline_incident")
+
+# ---------------------------------------------------------------- small dimensions
+cte("o_dim_classroom", f"""
+SELECT {K('s.tenant_code', 's.school_id', 'r.code')} AS k_classroom, s.k_school, s.tenant_code,
+       r.code AS classroom_id_code, 20 + s.school_id % 10 AS maximum_seating
+FROM stg_schools s JOIN (VALUES ('R101', 1), ('R102', 1), ('R103', 2)) r(code, m) ON s.school_id % r.m = 0
+JOIN o_dim_school d ON s.k_school = d.k_school""", "stg_schools", "o_dim_school")
+
+cte("o_dim_graduation_plan", f"""
+SELECT n.tenant_code, 2024 AS school_year, {K('n.tenant_code', 'n.n_nationkey', 'g.t', '2024')} AS k_graduation_plan,
+       {K('n.tenant_code', 'n.n_nationkey')} AS k_lea, g.t AS graduation_plan_type, g.c AS total_required_credits,
+       '[{{"subject": "Mathematics", "credits": ' || CAST(CAST(g.c / 5 AS INTEGER) AS VARCHAR) || '}}]'
+         AS v_credits_by_subjects
+FROM nation_tenant n CROSS JOIN (VALUES ('Standard', 22), ('Distinguished', 26)) g(t, c)""", "nation_tenant")
+
+cte("o_dim_learning_standard", f"""
+SELECT tenant_code, {K('tenant_code', "'LS'", 'p_type')} AS k_learning_standard, 'LS-' || p_type AS learning_standard_id,
+       upper(left(p_type, 1)) || lower(substr(p_type, 2)) || ' standard' AS learning_standard_description
+FROM (SELECT DISTINCT tenant_code, p_type FROM part_home) t""", "part_home")
+
+cte("o_fct_ls_grades", f"""
+SELECT g.* FROM (
+  SELECT hs.tenant_code, {K('hs.tenant_code', 'o.o_custkey', '2024')} AS k_student,
+         {K('hs.tenant_code', 'o.o_custkey % 10')} AS k_school,
+         {K('hp.tenant_code', 'l.l_partkey', "'S1'")} AS k_course_section,
+         {K('hs.tenant_code', 'o.o_custkey % 10', '2024',
+            "CASE WHEN l.l_linenumber % 2 = 0 THEN 'Third Quarter' ELSE 'Fourth Quarter' END")} AS k_grading_period,
+         {K('hp.tenant_code', "'LS'", 'p.p_type')} AS k_learning_standard,
+         CASE WHEN l.l_linestatus = 'F' THEN 'Final' ELSE 'Grading Period' END AS grade_type,
+         l.l_returnflag AS learning_standard_letter_grade_earned
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
+  JOIN home_school hs ON o.o_custkey % 10 = hs.home_school_id
+  JOIN home_school hp ON l.l_partkey % 10 = hp.home_school_id) g
+JOIN o_dim_student s ON g.k_student = s.k_student
+JOIN o_dim_school sc ON g.k_school = sc.k_school
+JOIN o_dim_course_section c ON g.k_course_section = c.k_course_section
+JOIN o_dim_grading_period gp ON g.k_grading_period = gp.k_grading_period
+JOIN o_dim_learning_standard ls ON g.k_learning_standard = ls.k_learning_standard""",
+    "home_school", "o_dim_student", "o_dim_school", "o_dim_course_section", "o_dim_grading_period",
+    "o_dim_learning_standard")
+
+cte("o_cohort_years", f"""
+SELECT tenant_code, 2024 AS api_year, {K('tenant_code', 'c_custkey', '2024')} AS k_student,
+       list_sort(list({{'cohort_type': t, 'school_year': y, 'term': m}})) AS cohort_years_array
+FROM (SELECT tenant_code, c_custkey, 'Ninth grade' AS t, CAST(2027 + c_custkey % 3 AS INTEGER) AS y, 'Fall' AS m
+      FROM customer_home
+      UNION ALL
+      SELECT tenant_code, c_custkey, 'Graduation', 2030, CAST(NULL AS VARCHAR) FROM customer_home
+      WHERE c_custkey % 2 = 0) u
+GROUP BY 1, 2, 3""", "customer_home")
+
+cte("o_primary_disability", f"""
+SELECT * FROM (
+  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
+         {K('tenant_code', 'o_custkey', 'school_year')} AS k_student, {K('tenant_code', 'o_orderpriority')} AS k_program,
+         d.t AS primary_disability_type
+  FROM orders_home JOIN (VALUES ('Autism', 1, 1), ('Another Disability', 5, 1)) d(t, m, o) ON o_orderkey % d.m = 0
+  WHERE o_orderpriority = '3-MEDIUM') x
+QUALIFY row_number() OVER (PARTITION BY k_student_program ORDER BY primary_disability_type ASC NULLS LAST) = 1""",
+    "orders_home")
+
+cte("o_wide_ids_lea", f"""
+SELECT n.tenant_code, 2024 AS api_year, {K('n.tenant_code', 'n.n_nationkey')} AS k_lea,
+       CAST(NULL AS VARCHAR) AS local_lea_code, 'N' || CAST(n.n_nationkey AS VARCHAR) AS nces_lea_code,
+       'S' || CAST(n.n_nationkey AS VARCHAR) AS state_lea_code
+FROM nation_tenant n JOIN o_dim_lea l ON {K('n.tenant_code', 'n.n_nationkey')} = l.k_lea""",
+    "nation_tenant", "o_dim_lea")

@@ -161,3 +161,10 @@ final("ds_fct_student_migrant_education_program_association", "o_fct_migrant_edu
 final("ds_fct_student_discipline_incident_summary", "o_incident_summary", bigint=("school_year",),
       lists=("behavior_types_array", "discipline_actions_array"))
 final("ds_fct_student_discipline_incident_non_offenders", "o_non_offenders", lists=("participation_codes_array",))
+final("ds_dim_classroom", "o_dim_classroom", bigint=("maximum_seating",))
+final("ds_dim_graduation_plan", "o_dim_graduation_plan", bigint=("school_year", "total_required_credits"))
+final("ds_dim_learning_standard", "o_dim_learning_standard")
+final("ds_fct_student_learning_standard_grades", "o_fct_ls_grades")
+final("ds_student_cohort_years", "o_cohort_years", bigint=("api_year",), json_lists=("cohort_years_array",))
+final("ds_student_program__special_education__primary_disability", "o_primary_disability", bigint=("school_year",))
+final("ds_wide_ids_lea", "o_wide_ids_lea", bigint=("api_year",))

@@ -21,7 +21,7 @@ def _flat_col(name: str, t: T.DataType) -> Column:
         return c.cast("bigint")
     if isinstance(t, T.ArrayType):
         if isinstance(t.elementType, (T.StructType, T.ArrayType, T.MapType)):
-            return F.array_join(F.sort_array(F.transform(c, lambda e: F.to_json(e))), ";")
+            return F.array_join(F.sort_array(F.transform(c, lambda e: F.to_json(e, {"ignoreNullFields": "false"}))), ";")
         return F.array_join(c.cast("array<string>"), ",")
     if isinstance(t, T.MapType):
         entries = F.transform(F.map_entries(c), lambda e: F.concat(e["key"].cast("string"), F.lit("="),

@@ -122,7 +122,7 @@ class Warehouse:
 def load_all() -> dict[str, Dataset]:
     """Import every plan module so their datasets register."""
     from . import (  # noqa: F401
-        assessments, attendance, calendar, checks, contacts, custom, discipline, epp, enrollment, finance, grades, orgs,
+        assessments, attendance, calendar, checks, contacts, custom, discipline, epp, enrollment, finance, grades, misc, orgs,
         programs, records, sections, students, subgroups,
     )
     return DATASETS

@@ -1328,3 +1328,85 @@ class Staging:
                         key("tenant_code", "witness").alias("k_student_xyear"),
                         key("tenant_code", "home_school_id", "event_id").alias("k_discipline_incident"),
                         F.explode(codes).alias("participation_code"))
+
+    # ---- classrooms, graduation plans, learning standards, cohort years, disabilities -----
+    def _stg_ef3__locations(self) -> DataFrame:
+        sch = self("stg_ef3__schools").select("tenant_code", "k_school", "school_id")
+        rooms = F.when(_mod("school_id", 2) == 0, F.array(F.lit("R101"), F.lit("R102"), F.lit("R103"))).otherwise(
+            F.array(F.lit("R101"), F.lit("R102")))
+        x = sch.select("*", F.explode(rooms).alias("classroom_id_code"))
+        return x.select("tenant_code", "k_school", key("tenant_code", "school_id", "classroom_id_code").alias("k_location"),
+                        "classroom_id_code", (F.lit(20) + _mod("school_id", 10)).alias("maximum_seating"))
+
+    def _stg_ef3__graduation_plans(self) -> DataFrame:
+        n = self("nation_tenant")
+        x = n.select("*", F.explode(F.array(F.lit("Standard"), F.lit("Distinguished"))).alias("graduation_plan_type"))
+        credits = F.when(F.col("graduation_plan_type") == "Standard", F.lit(22)).otherwise(F.lit(26))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+                        key("tenant_code", "n_nationkey", "graduation_plan_type", F.lit(SCHOOL_YEAR)).alias("k_graduation_plan"),
+                        key("tenant_code", "n_nationkey").alias("k_lea"), "graduation_plan_type",
+                        credits.alias("total_required_credits"),
+                        F.concat(F.lit('[{"subject": "Mathematics", "credits": '), (credits / 5).cast("int").cast("string"),
+                                 F.lit("}]")).alias("v_credits_by_subjects"))
+
+    def _stg_ef3__learning_standards(self) -> DataFrame:
+        p = self("part_home").select("tenant_code", "p_type").distinct()
+        return p.select("tenant_code", key("tenant_code", F.lit("LS"), "p_type").alias("k_learning_standard"),
+                        F.concat(F.lit("LS-"), F.col("p_type")).alias("learning_standard_id"),
+                        F.concat(F.initcap("p_type"), F.lit(" standard")).alias("learning_standard_description"))
+
+    def _stg_ef3__grades__learning_standards(self) -> DataFrame:
+        li = self.t("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_linestatus", "l_returnflag")
+        o = self.t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+        pt = self.t("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+        hs = self("home_school")
+        j = (li.join(o, "l_orderkey").join(pt, "l_partkey")
+             .join(hs.select(F.col("home_school_id").alias("stu_school"), "tenant_code"),
+                   _mod("o_custkey", N_HOME_SCHOOLS) == F.col("stu_school"))
+             .join(hs.select(F.col("home_school_id").alias("part_school"), F.col("tenant_code").alias("part_tenant")),
+                   _mod("l_partkey", N_HOME_SCHOOLS) == F.col("part_school")))
+        period = F.when(_mod("l_linenumber", 2) == 0, F.lit(GRADING_PERIODS[0][0])).otherwise(F.lit(GRADING_PERIODS[1][0]))
+        return j.select(
+            "tenant_code", key("tenant_code", "o_custkey", F.lit(SCHOOL_YEAR)).alias("k_student"),
+            key("tenant_code", "stu_school").alias("k_school"),
+            key("part_tenant", "l_partkey", F.lit("S1")).alias("k_course_section"),
+            key("tenant_code", "stu_school", F.lit(SCHOOL_YEAR), period).alias("k_grading_period"),
+            key("part_tenant", F.lit("LS"), "p_type").alias("k_learning_standard"),
+            F.when(F.col("l_linestatus") == "F", "Final").otherwise("Grading Period").alias("grade_type"),
+            F.col("l_returnflag").alias("learning_standard_letter_grade_earned"))
+
+    def _stg_ef3__stu_ed_org__cohort_years(self) -> DataFrame:
+        c = self("customer_home")
+        cy = F.filter(F.array(
+            F.struct(F.lit("Ninth grade").alias("t"), (F.lit(2027) + _mod("c_custkey", 3)).cast("int").alias("y"),
+                     F.lit("Fall").alias("m")),
+            F.when(_mod("c_custkey", 2) == 0, F.struct(F.lit("Graduation").alias("t"), F.lit(2030).alias("y"),
+                                                       F.lit(None).cast("string").alias("m")))),
+            lambda x: x.isNotNull())
+        x = c.select("*", F.explode(cy).alias("c"))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "c_custkey", F.lit(SCHOOL_YEAR)).alias("k_student"),
+                        F.col("c.t").alias("cohort_year_type"), F.col("c.y").alias("school_year"),
+                        F.col("c.m").alias("academic_term"))
+
+    def _stg_ef3__stu_spec_ed__disabilities(self) -> DataFrame:
+        s = self("stg_ef3__student_special_education_program_associations").select(
+            "tenant_code", "school_year", "k_student_program", "k_student", "k_program")
+        o = self("orders_home").select(key("tenant_code", "o_custkey", "o_orderkey").alias("k_student_program"),
+                                       "o_orderkey")
+        j = s.join(o, "k_student_program")
+        d = F.filter(F.array(
+            F.struct(F.lit("Autism").alias("t"), F.lit(1).alias("o")),
+            F.when(_mod("o_orderkey", 3) == 0, F.struct(F.lit("Speech Impairment").alias("t"), F.lit(2).alias("o"))),
+            F.when(_mod("o_orderkey", 5) == 0, F.struct(F.lit("Another Disability").alias("t"), F.lit(1).alias("o")))),
+            lambda x: x.isNotNull())
+        x = j.select("*", F.explode(d).alias("d"))
+        return x.select("tenant_code", "school_year", "k_student_program", "k_student", "k_program",
+                        F.col("d.t").alias("disability_type"), F.col("d.o").alias("order_of_disability"))
+
+    def _stg_ef3__local_education_agencies__identification_codes(self) -> DataFrame:
+        n = self("nation_tenant")
+        x = n.select("*", F.explode(F.array(F.lit("NCES"), F.lit("State"), F.lit("Other"))).alias("id_system"))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "n_nationkey").alias("k_lea"), "id_system",
+                        F.concat(F.left("id_system", F.lit(1)), F.col("n_nationkey").cast("string")).alias("id_code"))
