@@ -15,6 +15,9 @@ from pyspark.sql import SparkSession
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # size post-shuffle partitions by the advisory size, not by maximal parallelism
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     # broadcast decisions are taken by AQE from the measured shuffle size
