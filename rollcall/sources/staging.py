@@ -141,7 +141,7 @@ class Staging:
     def _nation_tenant(self) -> DataFrame:
         n = self.t("nation").select("n_nationkey", "n_name", "n_regionkey")
         r = self.t("region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("tenant_code"))
-        return n.join(F.broadcast(r), "n_regionkey")
+        return n.join(r, "n_regionkey")
 
     def _stg_ef3__local_education_agencies(self) -> DataFrame:
         nt = self("nation_tenant")
@@ -157,7 +157,7 @@ class Staging:
     def _stg_ef3__schools(self) -> DataFrame:
         s = self.t("supplier").select("s_suppkey", "s_name", "s_nationkey")
         nt = self("nation_tenant").select(F.col("n_nationkey").alias("s_nationkey"), "tenant_code")
-        s = s.join(F.broadcast(nt), "s_nationkey")
+        s = s.join(nt, "s_nationkey")
         return s.select(
             "tenant_code",
             F.lit(SCHOOL_YEAR).alias("api_year"),
@@ -175,7 +175,8 @@ class Staging:
         s = (self.t("supplier").select("s_suppkey", "s_nationkey")
              .filter(F.col("s_suppkey").between(0, N_HOME_SCHOOLS - 1)))
         nt = self("nation_tenant").select(F.col("n_nationkey").alias("s_nationkey"), "tenant_code")
-        return F.broadcast(s.join(F.broadcast(nt), "s_nationkey").select(
+        # at most N_HOME_SCHOOLS rows (supplier keys are unique): broadcast by construction
+        return F.broadcast(s.join(nt, "s_nationkey").select(
             F.col("s_suppkey").alias("home_school_id"), "tenant_code", F.col("s_nationkey").alias("home_nationkey")))
 
     # ---- calendars and sessions ------------------------------------------
