@@ -59,7 +59,8 @@ final("dq_d6_calendar_event_codes", "o_dq_d6")
 final("dq_d7_discipline_actions", "o_dq_d7")
 final("dq_d8_letter_grades", "o_dq_d8")
 final("dq_d12_attendance_dates_without_calendar", "o_dq_d12")
-final("dq_d13_enrollments_with_ambiguous_calendars", "o_dq_d13", bigint=("school_year",), double=("pct_missing",))
+final("dq_d13_enrollments_with_ambiguous_calendars", "o_dq_d13", bigint=("school_year", "n_students_missing_calendar"),
+      double=("pct_missing",))
 final("dq_d20_missing_demographics", "o_dq_d20", bigint=("api_year",))
 final("dq_d25_attendance_event_duplicates", "o_dq_d25", double=("is_absent",))
 final("ds_qc_attendance_freshness", "o_qc_freshness", bigint=("school_year",))
@@ -87,7 +88,8 @@ final("ds_dim_staff", "o_dim_staff")
 final("ds_fct_staff_section_association", "o_fct_staff_section", bigint=("school_year",))
 final("ds_qc_sections_per_enrollment", "o_sections_per_enrollment", bigint=("school_year",))
 final("dq_d18_enrollments_without_overlapping_sections", "o_dq_d18", bigint=("school_year",))
-final("dq_d22_schools_with_enrollments_without_sections", "o_dq_d22", bigint=("school_year",))
+final("dq_d22_schools_with_enrollments_without_sections", "o_dq_d22",
+      bigint=("school_year", "n_enrollments_without_sections"))
 final("dq_d23_sections_without_staff", "o_dq_d23", bigint=("school_year", "available_credits"))
 final("dq_d24_sections_without_students", "o_dq_d24", bigint=("school_year", "available_credits"))
 final("ds_parent_wide_emails", "o_parent_wide_emails")
