@@ -528,9 +528,15 @@ FROM (SELECT tenant_code, staff_unique_id, 'Work' AS t,
       UNION ALL SELECT tenant_code, staff_unique_id, 'Other', lower(staff_unique_id) || '@district.org'
       FROM staff_home WHERE c_custkey % 5 = 0) u""", "staff_home")
 
-cte("o_staff_emails", """
+cte("o_staff_emails", f"""
 SELECT *, regexp_matches(email_address, '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]+') AS is_valid_email
-FROM stg_staff_emails""", "stg_staff_emails")
+FROM (SELECT tenant_code, k_staff, CAST(NULL AS VARCHAR) AS k_lea, CAST(NULL AS VARCHAR) AS k_school, email_type,
+             email_address
+      FROM stg_staff_emails
+      UNION ALL
+      SELECT tenant_code, {K('tenant_code', 'staff_unique_id')}, {K('tenant_code', 'home_nationkey')},
+             {K('tenant_code', 'home_school_id')}, 'Work', lower(staff_unique_id) || '@district2024.org'
+      FROM staff_home) u""", "stg_staff_emails", "staff_home")
 
 cte("o_staff_official_emails", """
 SELECT tenant_code, k_staff, email_type, email_address FROM o_staff_emails
@@ -550,7 +556,8 @@ SELECT {K('s.tenant_code', 's.staff_unique_id')} AS k_staff, s.tenant_code, s.st
 FROM staff_home s
 LEFT JOIN (SELECT * FROM o_staff_emails WHERE is_valid_email
            QUALIFY row_number() OVER (PARTITION BY k_staff
-                                      ORDER BY (email_type = 'Work') DESC NULLS LAST, email_type ASC NULLS LAST) = 1) e
+                                      ORDER BY (email_type = 'Work') DESC NULLS LAST, email_type ASC NULLS LAST,
+                                               email_address ASC NULLS LAST) = 1) e
   ON {K('s.tenant_code', 's.staff_unique_id')} = e.k_staff""", "staff_home", "o_staff_emails")
 
 cte("o_fct_staff_section", f"""

@@ -40,13 +40,15 @@ def flag_first(df: DataFrame, name: str, partition_by: Sequence, order_by: Seque
 
 
 def row_pluck(df: DataFrame, key: Sequence | str, column: str, preferred: str,
-              where: Column | None = None) -> DataFrame:
+              where: Column | None = None, tie_break: Sequence = ()) -> DataFrame:
     """R2: one row per ``key`` - the ``preferred`` value of ``column`` if present,
-    else the first alphabetically.  Adds ``is_preferred``."""
+    else the first alphabetically.  Adds ``is_preferred``.  ``tie_break``
+    orders rows sharing the same value (the reference leaves that arbitrary)."""
     if where is not None:
         df = df.filter(where)
     df = df.withColumn("is_preferred", F.col(column) == F.lit(preferred))
-    return deduplicate(df, key, [F.col("is_preferred").desc_nulls_last(), F.col(column).asc_nulls_last()])
+    return deduplicate(df, key, [F.col("is_preferred").desc_nulls_last(), F.col(column).asc_nulls_last(),
+                                 *_cols(list(tie_break))])
 
 
 def flag_first_by_key(df: DataFrame, name: str, partition_by: Sequence[str], sort_key: Column,

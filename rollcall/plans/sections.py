@@ -37,8 +37,17 @@ def fct_student_section_association(wh) -> DataFrame:
 
 @dataset("bld_staff_emails")
 def staff_emails(wh) -> DataFrame:
-    """staff e-mails with a validity flag (pattern anchored at the start)."""
-    e = wh("stg_ef3__staffs__emails")
+    """The staff's own e-mails stacked with ed-org contact e-mails
+    (only those of the staff row's year), with a validity flag (pattern
+    anchored at the start)."""
+    own = wh("stg_ef3__staffs__emails").select(
+        "tenant_code", "k_staff", F.lit(None).cast("string").alias("k_lea"),
+        F.lit(None).cast("string").alias("k_school"), "email_type", "email_address")
+    c = wh("stg_ef3__staff_education_organization_contact_associations")
+    st = wh("stg_ef3__staffs").select("k_staff", "api_year")
+    org = c.join(st, ["k_staff", "api_year"]).select(
+        "tenant_code", "k_staff", "k_lea", "k_school", F.col("contact_title").alias("email_type"), "email_address")
+    e = own.unionByName(org)
     return e.withColumn("is_valid_email", F.col("email_address").rlike(EMAIL_PATTERN))
 
 
@@ -60,7 +69,7 @@ def dim_staff(wh) -> DataFrame:
     cfg = wh.config
     st = wh("stg_ef3__staffs")
     em = row_pluck(wh("bld_staff_emails"), "k_staff", "email_type", cfg.preferred_staff_email,
-                   where=F.col("is_valid_email")).select("k_staff", F.col("email_address").alias("email_address"),
+                   where=F.col("is_valid_email"), tie_break=[F.col("email_address").asc_nulls_last()]).select("k_staff", F.col("email_address").alias("email_address"),
                                                          F.col("email_type").alias("email_type"))
     return st.join(em, "k_staff", "left").select(
         "k_staff", "tenant_code", "staff_unique_id", "first_name", "middle_name", "last_name",

@@ -1411,3 +1411,13 @@ class Staging:
         return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
                         key("tenant_code", "n_nationkey").alias("k_lea"), "id_system",
                         F.concat(F.left("id_system", F.lit(1)), F.col("n_nationkey").cast("string")).alias("id_code"))
+
+    def _stg_ef3__staff_education_organization_contact_associations(self) -> DataFrame:
+        st = self("staff_home")
+        x = st.select("*", F.explode(F.array(F.lit(SCHOOL_YEAR), F.lit(PRIOR_YEAR))).alias("api_year"))
+        return x.select("tenant_code", "api_year", key("tenant_code", "staff_unique_id").alias("k_staff"),
+                        key("tenant_code", "home_nationkey").alias("k_lea"),
+                        key("tenant_code", "home_school_id").alias("k_school"),
+                        F.lit("Work").alias("contact_title"),
+                        F.concat(F.lower("staff_unique_id"), F.lit("@district"), F.col("api_year").cast("string"),
+                                 F.lit(".org")).alias("email_address"))
