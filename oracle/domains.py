@@ -1519,3 +1519,14 @@ SELECT n.tenant_code, 2024 AS api_year, {K('n.tenant_code', 'n.n_nationkey')} AS
        'S' || CAST(n.n_nationkey AS VARCHAR) AS state_lea_code
 FROM nation_tenant n JOIN o_dim_lea l ON {K('n.tenant_code', 'n.n_nationkey')} = l.k_lea""",
     "nation_tenant", "o_dim_lea")
+
+cte("o_objective_scores", f"""
+SELECT a.tenant_code, a.api_year, {K('a.tenant_code', "'ASMT'", 'a.assessment_identifier', 'c.code')} AS k_objective_assessment,
+       ['Mastery', 'Raw Score'] AS scores_array
+FROM stg_assessments a CROSS JOIN (VALUES ('OBJ-A'), ('OBJ-B')) c(code)""", "stg_assessments")
+
+cte("o_objective_pls", f"""
+SELECT a.tenant_code, a.api_year, {K('a.tenant_code', "'ASMT'", 'a.assessment_identifier', 'c.code')} AS k_objective_assessment,
+       list_sort([{{'performance_level_name': 'Met', 'performance_level_value': '1'}},
+                  {{'performance_level_name': 'Not Met', 'performance_level_value': '0'}}]) AS performance_levels_array
+FROM stg_assessments a CROSS JOIN (VALUES ('OBJ-A'), ('OBJ-B')) c(code)""", "stg_assessments")

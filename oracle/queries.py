@@ -170,3 +170,6 @@ final("ds_fct_student_learning_standard_grades", "o_fct_ls_grades")
 final("ds_student_cohort_years", "o_cohort_years", bigint=("api_year",), json_lists=("cohort_years_array",))
 final("ds_student_program__special_education__primary_disability", "o_primary_disability", bigint=("school_year",))
 final("ds_wide_ids_lea", "o_wide_ids_lea", bigint=("api_year",))
+final("ds_objective_assessment_scores", "o_objective_scores", bigint=("api_year",), lists=("scores_array",))
+final("ds_objective_assessment_performance_levels", "o_objective_pls", bigint=("api_year",),
+      json_lists=("performance_levels_array",))

@@ -165,3 +165,20 @@ def fct_student_objective_assessment(wh) -> DataFrame:
     return j.select("k_student_objective_assessment", "k_objective_assessment", "k_student_assessment",
                     "k_assessment", F.col("__dim_student").alias("k_student"), "k_student_xyear", "tenant_code",
                     "school_year", "administration_date", *names, "v_other_results")
+
+
+@dataset("bld_objective_assessment_scores", grain=("k_objective_assessment",), domain="assessment")
+def objective_assessment_scores(wh) -> DataFrame:
+    """Score names per objective assessment."""
+    return (wh("stg_ef3__objective_assessments__scores").groupBy("tenant_code", "api_year", "k_objective_assessment")
+            .agg(sorted_array("score_name").alias("scores_array")))
+
+
+@dataset("bld_objective_assessment_performance_levels", grain=("k_objective_assessment",), domain="assessment")
+def objective_assessment_performance_levels(wh) -> DataFrame:
+    """Array of {name, value} objects per objective assessment."""
+    pl = wh("stg_ef3__objective_assessments__performance_levels")
+    return pl.groupBy("tenant_code", "api_year", "k_objective_assessment").agg(
+        sorted_struct_array(F.col("performance_level_name").alias("performance_level_name"),
+                            F.col("performance_level_value").alias("performance_level_value"))
+        .alias("performance_levels_array"))

@@ -1421,3 +1421,15 @@ class Staging:
                         F.lit("Work").alias("contact_title"),
                         F.concat(F.lower("staff_unique_id"), F.lit("@district"), F.col("api_year").cast("string"),
                                  F.lit(".org")).alias("email_address"))
+
+    def _stg_ef3__objective_assessments__scores(self) -> DataFrame:
+        o = self("stg_ef3__objective_assessments").select("tenant_code", "api_year", "k_objective_assessment")
+        return o.select("*", F.explode(F.array(F.lit("Raw Score"), F.lit("Mastery"))).alias("score_name"))
+
+    def _stg_ef3__objective_assessments__performance_levels(self) -> DataFrame:
+        o = self("stg_ef3__objective_assessments").select("tenant_code", "api_year", "k_objective_assessment")
+        pl = F.explode(F.array(F.struct(F.lit("Met").alias("n"), F.lit("1").alias("v")),
+                               F.struct(F.lit("Not Met").alias("n"), F.lit("0").alias("v"))))
+        x = o.select("*", pl.alias("p"))
+        return x.select("tenant_code", "api_year", "k_objective_assessment",
+                        F.col("p.n").alias("performance_level_name"), F.col("p.v").alias("performance_level_value"))
