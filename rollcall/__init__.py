@@ -1,4 +1,4 @@
-"""rollcall: a K-12 education analytics warehouse built on Spark DataFrames.
+"""rollcall: a K-12 school data warehouse built on Spark DataFrames.
 
 ``Warehouse(spark, sources, config)`` resolves dataset names to lazy
 DataFrames; ``rollcall.plans`` holds the dataset definitions,
