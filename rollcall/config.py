@@ -35,6 +35,9 @@ class Config:
     # run date; None -> current_date()
     as_of: _dt.date | None = None
 
+    # fixed values: defaults of the reference's configuration (attendance
+    # threshold 90, 20 enrolled days, one school-day event, excluded withdraw
+    # codes 'No show' and 'Invalid enrollment', inclusive exit dates)
     # attendance
     in_attendance_code: str = "In Attendance"
     chronic_absence_threshold: Decimal = Decimal("90")
