@@ -1530,3 +1530,24 @@ SELECT a.tenant_code, a.api_year, {K('a.tenant_code', "'ASMT'", 'a.assessment_id
        list_sort([{{'performance_level_name': 'Met', 'performance_level_value': '1'}},
                   {{'performance_level_name': 'Not Met', 'performance_level_value': '0'}}]) AS performance_levels_array
 FROM stg_assessments a CROSS JOIN (VALUES ('OBJ-A'), ('OBJ-B')) c(code)""", "stg_assessments")
+
+# ---------------------------------------------------------------- builds registered on their own
+cte("o_immutable_stu_demos", """
+SELECT k_student, k_student_xyear, first_name, middle_name, last_name, birth_date,
+       last_name || ', ' || first_name || coalesce(' ' || left(middle_name, 1), '') AS display_name,
+       last_name || ', ' || first_name || coalesce(' ' || left(middle_name, 1), '') || ' (' || student_unique_id || ')'
+         AS safe_display_name
+FROM stg_students""", "stg_students")
+
+cte("o_assessment_scores", """
+SELECT tenant_code, api_year, k_assessment, ['Percentile', 'Raw Score', 'Scale Score'] AS scores_array
+FROM stg_assessments""", "stg_assessments")
+
+cte("o_assessment_grade_levels", """
+SELECT tenant_code, api_year, k_assessment, ['Fourth grade', 'Third grade'] AS grades_array FROM stg_assessments""",
+    "stg_assessments")
+
+cte("o_candidate_other_names", """
+SELECT tenant_code, api_year, k_candidate, k_candidate_xyear, left(first_name, 2) || '-A' AS alias_first_name,
+       upper(last_name) AS alias_last_surname
+FROM stg_candidates""", "stg_candidates")

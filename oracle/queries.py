@@ -173,3 +173,14 @@ final("ds_wide_ids_lea", "o_wide_ids_lea", bigint=("api_year",))
 final("ds_objective_assessment_scores", "o_objective_scores", bigint=("api_year",), lists=("scores_array",))
 final("ds_objective_assessment_performance_levels", "o_objective_pls", bigint=("api_year",),
       json_lists=("performance_levels_array",))
+final("ds_choose_stu_demos", "o_choose_stu_demos", bigint=("api_year",))
+final("ds_stu_race_ethnicity", "o_stu_race", lists=("race_array",))
+final("ds_stu_grade_level", "o_stu_grade", bigint=("school_year", "grade_level_integer"))
+final("ds_student_characteristics", "o_stu_chars", bigint=("api_year",))
+final("ds_immutable_stu_demos", "o_immutable_stu_demos")
+final("ds_parent_wide_phone_numbers", "o_parent_wide_phones")
+final("ds_staff_emails", "o_staff_emails")
+final("ds_assessment_scores", "o_assessment_scores", bigint=("api_year",), lists=("scores_array",))
+final("ds_assessment_grade_levels", "o_assessment_grade_levels", bigint=("api_year",), lists=("grades_array",))
+final("ds_candidate_race_ethnicity", "o_candidate_race", lists=("race_array",))
+final("ds_candidate__other_names", "o_candidate_other_names", bigint=("api_year",))
