@@ -1013,11 +1013,26 @@ JOIN o_dim_candidate c ON s.k_candidate = c.k_candidate
 JOIN o_dim_staff st ON s.k_staff = st.k_staff""", "candidate_home", "o_dim_candidate", "o_dim_staff")
 
 # ---------------------------------------------------------------- config-injected columns
+cte("o_stu_grade_custom", """
+SELECT g.tenant_code, g.k_student, g.school_year, g.entry_grade_level, x.grade_level_integer
+FROM (SELECT g0.tenant_code, g0.k_student, g0.school_year,
+             coalesce(CASE WHEN i.reading_level >= 4 THEN 'Fourth grade' END, g0.entry_grade_level) AS entry_grade_level
+      FROM o_stu_grade g0 LEFT JOIN o_student_indicators i ON g0.k_student = i.k_student) g
+LEFT JOIN xwalk_grade_levels x ON g.entry_grade_level = x.grade_level""",
+    "o_stu_grade", "o_student_indicators", "xwalk_grade_levels")
+
 cte("o_dim_student_custom", """
-SELECT s.*, (s.gender = 'Female' AND s.is_gifted) AS is_female_gifted, coalesce(i.has_iep, false) AS has_iep,
-       coalesce(s.grade_level_integer >= 3, false) AS is_upper_grade
-FROM o_dim_student s LEFT JOIN o_student_indicators i ON s.k_student = i.k_student""",
-    "o_dim_student", "o_student_indicators")
+SELECT s.* REPLACE (g.entry_grade_level AS grade_level, g.grade_level_integer AS grade_level_integer),
+       (s.gender = 'Female' AND s.is_gifted) AS is_female_gifted, coalesce(i.has_iep, false) AS has_iep,
+       coalesce(g.grade_level_integer >= 3, false) AS is_upper_grade
+FROM o_dim_student s
+LEFT JOIN o_student_indicators i ON s.k_student = i.k_student
+LEFT JOIN o_stu_grade_custom g ON s.k_student = g.k_student AND s.school_year = g.school_year""",
+    "o_dim_student", "o_student_indicators", "o_stu_grade_custom")
+
+cte("o_dq_d19", """
+SELECT k_student, count(*) AS n_records FROM o_student_indicators GROUP BY 1 HAVING count(*) > 1""",
+    "o_student_indicators")
 
 cte("o_dim_school_custom", """
 SELECT d.*, 2024 AS api_year, d.school_category = 'Elementary School' AS is_elementary FROM o_dim_school d""",

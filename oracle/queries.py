@@ -184,3 +184,5 @@ final("ds_assessment_scores", "o_assessment_scores", bigint=("api_year",), lists
 final("ds_assessment_grade_levels", "o_assessment_grade_levels", bigint=("api_year",), lists=("grades_array",))
 final("ds_candidate_race_ethnicity", "o_candidate_race", lists=("race_array",))
 final("ds_candidate__other_names", "o_candidate_other_names", bigint=("api_year",))
+final("ds_stu_grade_level_custom", "o_stu_grade_custom", bigint=("school_year", "grade_level_integer"))
+final("dq_d19_grade_level_override_unique", "o_dq_d19")

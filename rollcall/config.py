@@ -61,6 +61,8 @@ class Config:
     immutable_demos: bool = False
     display_name_expr: str | None = None
     intersection_groups: tuple[tuple[str, str], ...] = ()  # (name, boolean SQL expression)
+    # (source relation, SQL expression over it) replacing the enrolled grade when not NULL
+    grade_level_override: tuple[str, str] | None = None
 
     # staff
     preferred_staff_email: str = "Work"
@@ -109,4 +111,5 @@ CUSTOM_CONFIG = Config(
         "dim_school": ((None, "is_elementary", "school_category = 'Elementary School'"),),
     },
     extensions={"stg_ef3__schools": ("api_year",)},
+    grade_level_override=("bld_student_indicators", "CASE WHEN reading_level >= 4 THEN 'Fourth grade' END"),
 )

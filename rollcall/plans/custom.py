@@ -62,3 +62,13 @@ def custom_school_sources_unique(wh) -> DataFrame:
 @check("d17_custom_student_sources_unique", "error")
 def custom_student_sources_unique(wh) -> DataFrame:
     return custom_source_duplicates(wh, "dim_student", ["k_student"])
+
+
+@check("d19_grade_level_override_unique", "error")
+def grade_level_override_unique(wh) -> DataFrame:
+    """The grade override source must be unique on k_student."""
+    if not wh.config.grade_level_override:
+        return wh.spark.createDataFrame([], "k_student string, n_records bigint")
+    source, _ = wh.config.grade_level_override
+    return (wh(source).groupBy("k_student").agg(F.count(F.lit(1)).alias("n_records"))
+            .filter(F.col("n_records") > 1))

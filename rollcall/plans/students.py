@@ -44,6 +44,13 @@ def stu_grade_level(wh) -> DataFrame:
     g = deduplicate(e, ["k_student", "school_year"], [
         F.col("entry_date").desc_nulls_first(), F.col("exit_withdraw_date").desc_nulls_first(),
         F.col("entry_grade_level").desc_nulls_first()])
+    if wh.config.grade_level_override:
+        # Left join the override source, coalesce(override, enrolled grade);
+        # D19 checks the source is unique on k_student
+        source, expr = wh.config.grade_level_override
+        ov = wh(source).select("k_student", F.expr(expr).cast("string").alias("__override"))
+        g = (g.join(ov, "k_student", "left")
+             .withColumn("entry_grade_level", F.coalesce("__override", "entry_grade_level")).drop("__override"))
     xw = seed(wh("xwalk_grade_levels"))
     return (g.join(xw, g.entry_grade_level == xw.grade_level, "left")
             .select("tenant_code", "k_student", "school_year", "entry_grade_level", "grade_level_integer"))
