@@ -7,6 +7,7 @@ broadcast because their size is fixed by this file.
 
 from __future__ import annotations
 
+import datetime as _dt
 from decimal import Decimal as D
 
 from pyspark.sql import DataFrame, SparkSession
@@ -135,6 +136,14 @@ OBJECTIVE_ASSESSMENT_SCORES = [
 ID_TYPES_STUDENT = [("State", "state"), ("District", "district")]
 ID_TYPES_STAFF = [("State", "state"), ("District", "district")]
 
+# fixed values: assessment school-year windows (identifier, namespace, school year, start, end)
+ASSESSMENT_SCHOOL_YEAR_DATES = [
+    ("1-URGENT", "uri://rollcall.example/assessment", 2023, _dt.date(2022, 8, 1), _dt.date(2023, 7, 31)),
+    ("1-URGENT", "uri://rollcall.example/assessment", 2024, _dt.date(2023, 7, 15), _dt.date(2024, 7, 31)),
+    ("2-HIGH", None, 2023, _dt.date(2022, 8, 1), _dt.date(2023, 7, 31)),
+    ("2-HIGH", None, 2024, _dt.date(2023, 8, 1), _dt.date(2024, 7, 31)),
+]
+
 # fixed values: student characteristic descriptors -> indicator column names
 STUDENT_CHARACTERISTICS = [
     ("Economic Disadvantaged", "is_economic_disadvantaged"),
@@ -153,6 +162,7 @@ _SCHEMAS = {
     "xwalk_subgroup_value_display_names": "subgroup_category string, subgroup_value string, subgroup_value_display_name string",
     "xwalk_student_programs": "program_name string, indicator_name string, is_active boolean, is_annual boolean, is_ever boolean",
     "xwalk_discipline_behaviors": "behavior_type string, severity_order int",
+    "xwalk_assessment_school_year_dates": "assessment_identifier string, namespace string, school_year int, start_date date, end_date date",
     "xwalk_id_types_student": "id_system string, id_name string",
     "xwalk_id_types_staff": "id_system string, id_name string",
     "xwalk_objective_assessment_scores": "assessment_identifier string, namespace string, objective_assessment_identification_code string, original_score_name string, normalized_score_name string",
@@ -178,6 +188,7 @@ _ROWS = {
     "xwalk_subgroup_value_display_names": SUBGROUP_VALUE_NAMES,
     "xwalk_student_programs": STUDENT_PROGRAMS,
     "xwalk_discipline_behaviors": DISCIPLINE_BEHAVIORS,
+    "xwalk_assessment_school_year_dates": ASSESSMENT_SCHOOL_YEAR_DATES,
     "xwalk_id_types_student": ID_TYPES_STUDENT,
     "xwalk_id_types_staff": ID_TYPES_STAFF,
     "xwalk_objective_assessment_scores": OBJECTIVE_ASSESSMENT_SCORES,

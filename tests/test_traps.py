@@ -66,3 +66,13 @@ def test_unambiguous_only_keeps_single_calendar_schools(spark):
                                 "k_school string, school_year int, k_school_calendar string")
     out = joins.unambiguous_only(cal, ["k_school", "school_year"])
     assert [r.k_school_calendar for r in out.collect()] == ["a"]
+
+
+def test_d1_overlapping_assessment_windows_across_years(spark):
+    import __spark_entry__ as E
+    from rollcall.plans.checks import CHECKS
+    wh = E.warehouse(spark, "/root/testdata/sf0.001")
+    rows = CHECKS["d1_assessment_school_year_overlapping_dates"].fn(wh).collect()
+    # only the 1-URGENT pair overlaps (2023 ends 2023-07-31, 2024 starts 2023-07-15); the NULL namespace pair
+    # is matched null-safely but does not overlap
+    assert [(r.assessment_identifier, r.school_year, r.overlapping_school_year) for r in rows] == [("1-URGENT", 2023, 2024)]
