@@ -16,7 +16,11 @@ def _plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def wh(spark):
-    return E.warehouse(spark, SF)
+    # a private warehouse: the shared one may already hold these datasets as written tables
+    from rollcall import TEST_CONFIG, Warehouse, load_all
+    from rollcall.sources.staging import Staging
+    load_all()
+    return Warehouse(spark, Staging(spark, SF), TEST_CONFIG)
 
 
 def test_daily_attendance_shuffles_the_big_table_once(wh):
