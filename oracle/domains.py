@@ -1566,3 +1566,12 @@ cte("o_candidate_other_names", """
 SELECT tenant_code, api_year, k_candidate, k_candidate_xyear, left(first_name, 2) || '-A' AS alias_first_name,
        upper(last_name) AS alias_last_surname
 FROM stg_candidates""", "stg_candidates")
+
+cte("o_dim_course_section_custom", """
+SELECT c.*, coalesce(w.is_honors, false) AS is_honors_section
+FROM o_dim_course_section c LEFT JOIN o_course_char_wide w ON c.k_course_section = w.k_course_section""",
+    "o_dim_course_section", "o_course_char_wide")
+
+cte("o_dq_d15", """
+SELECT k_course_section, count(*) AS n_records, 'bld_course_char__combined_wide' AS source
+FROM o_course_char_wide GROUP BY 1 HAVING count(*) > 1""", "o_course_char_wide")

@@ -186,3 +186,5 @@ final("ds_candidate_race_ethnicity", "o_candidate_race", lists=("race_array",))
 final("ds_candidate__other_names", "o_candidate_other_names", bigint=("api_year",))
 final("ds_stu_grade_level_custom", "o_stu_grade_custom", bigint=("school_year", "grade_level_integer"))
 final("dq_d19_grade_level_override_unique", "o_dq_d19")
+final("ds_dim_course_section_custom", "o_dim_course_section_custom", bigint=("school_year", "available_credits"))
+final("dq_d15_custom_course_section_sources_unique", "o_dq_d15")

@@ -109,6 +109,8 @@ CUSTOM_CONFIG = Config(
         "dim_student": (("bld_student_indicators", "has_iep", "coalesce(bld_student_indicators.has_iep, false)"),
                         (None, "is_upper_grade", "coalesce(grade_level_integer >= 3, false)")),
         "dim_school": ((None, "is_elementary", "school_category = 'Elementary School'"),),
+        "dim_course_section": (("bld_course_char__combined_wide", "is_honors_section",
+                                "coalesce(bld_course_char__combined_wide.is_honors, false)"),),
     },
     extensions={"stg_ef3__schools": ("api_year",)},
     grade_level_override=("bld_student_indicators", "CASE WHEN reading_level >= 4 THEN 'Fourth grade' END"),

@@ -54,6 +54,11 @@ def custom_source_duplicates(wh, dataset: str, key: Sequence[str]) -> DataFrame:
     return out
 
 
+@check("d15_custom_course_section_sources_unique", "error")
+def custom_course_section_sources_unique(wh) -> DataFrame:
+    return custom_source_duplicates(wh, "dim_course_section", ["k_course_section"])
+
+
 @check("d16_custom_school_sources_unique", "error")
 def custom_school_sources_unique(wh) -> DataFrame:
     return custom_source_duplicates(wh, "dim_school", ["k_school"])

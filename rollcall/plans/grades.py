@@ -23,9 +23,11 @@ def dim_course_section(wh) -> DataFrame:
     s = wh("stg_ef3__sections")
     c = wh("dim_course").select("k_course", "course_code", "course_title", "academic_subject")
     ses = wh("dim_session").select("k_session", "session_name")
-    return s.join(c, "k_course").join(ses, "k_session", "left").select(
+    from .custom import add_custom_columns
+    out = s.join(c, "k_course").join(ses, "k_session", "left").select(
         "k_course_section", "k_course", "k_school", "k_session", "tenant_code", "school_year", "section_id",
         "section_name", "available_credits", "course_code", "course_title", "academic_subject", "session_name")
+    return add_custom_columns(wh, "dim_course_section", out, ["k_course_section"])
 
 
 @dataset("dim_grading_period", grain=("k_grading_period",))
