@@ -59,9 +59,13 @@ def exact_dedup(docs: DataFrame, kept_columns: list[Column] | None = None, id_co
     best = F.max(F.struct("_dedup_id", (-F.col("_dedup_row")).alias("_dedup_row")))
     groups = (rows.where(F.col("_dedup_hash").isNotNull()).groupBy("_dedup_hash")
               .agg(best.alias("_dedup_best"), F.count("*").alias("_dedup_n")).where("_dedup_n > 1"))
+    # rows told apart earlier have no hash and take no part in the join
+    hashed = rows.where(F.col("_dedup_hash").isNotNull()).join(groups, "_dedup_hash", "left")
+    alone = rows.where(F.col("_dedup_hash").isNull()).select(
+        *own, F.col("_dedup_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     grouped = F.col("_dedup_n").isNotNull()
-    return rows.join(groups, "_dedup_hash", "left").select(
+    return hashed.select(
         *own,
         F.when(grouped, F.col("_dedup_best._dedup_id")).otherwise(F.col("_dedup_id")).alias("keep_id"),
         F.coalesce("_dedup_n", F.lit(1)).cast("long").alias("group_size"),
-        F.when(grouped, F.col("_dedup_best._dedup_row") == -F.col("_dedup_row")).otherwise(F.lit(True)).alias("kept"))
+        F.when(grouped, F.col("_dedup_best._dedup_row") == -F.col("_dedup_row")).otherwise(F.lit(True)).alias("kept")).unionByName(alone)
