@@ -11,8 +11,8 @@ key; joins with the key tables leave skew to AQE, and no step holds a group.
 
 Edge cases: null texts count as empty; the largest doc_id stays, null ids
 come last; among rows that share text and id one row stays; an empty table
-gives an empty result; columns of the input keep their names, and the
-operator's own work columns start with ``_dedup_``.
+gives an empty result; columns of the input with the names of the result give
+way to it, and the operator's own work columns start with ``_dedup_``.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, written
 
 PREFIX = 128
+RESULT = ("keep_id", "group_size", "kept")
 
 
 def normalised(text: Column) -> Column:
@@ -47,7 +48,7 @@ def exact_dedup(docs: DataFrame, kept_columns: list[Column] | None = None, id_co
                 .groupBy("_dedup_length", "_dedup_prefix").agg(F.count("*").alias("n")).where("n > 1")
                 .select("_dedup_length", "_dedup_prefix", F.lit(True).alias("_dedup_suspect")))
 
-    columns = [F.col(c) for c in docs.columns] if kept_columns is None else kept_columns
+    columns = [F.col(c) for c in docs.columns if c not in RESULT] if kept_columns is None else kept_columns
     wide = docs.select(*columns, doc.alias("_dedup_id"), length, prefix, normalised(text).alias("_dedup_text"))
     own = docs.select(*columns).columns
     rows = written(

@@ -14,7 +14,9 @@ is cut down by bounds before overlaps are counted:
   multiplied, one block per column;
 * within a block a pair is dropped if its sizes, or the columns that either
   has left from the meeting point on, cannot reach the overlap needed (a
-  similar pair passes in the block of the first column it shares).
+  similar pair passes in the block of the first column it shares);
+* a pair is also dropped if the number of columns its prefixes share, with all
+  that may follow, cannot reach the overlap.
 
 Overlaps of the remaining pairs are counted over the whole sets.
 
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import LOWER_BYTES, arrow_rows, text_bytes, written
 from .graph import components
 
-WORDS, PERCENT, LEADERS = 5, 80, 4
+WORDS, PERCENT, LEADERS = 5, 80, 2
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
 _LOW = np.uint64((1 << (64 - BUCKET_BITS)) - 1)
@@ -125,26 +127,44 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
 
     rows = written(arrow_rows(src, f"doc_id {kind}, row bigint, n bigint, sig binary, prefix array<bigint>", prefixes), "sets")
     classes = written(rows.where("n > 0").groupBy("sig").agg(F.min("row").alias("node"), F.min("doc_id").alias("low"),
-                                                             F.min_by("doc_id", "row").alias("of")), "classes")
-
-    posts = (rows.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
-             .select("row", "n", F.posexplode("prefix").alias("pos", "col"))
-             .select("col", F.col("row").alias("node"), F.col("n").cast("int").alias("n"), F.col("pos").cast("int").alias("pos")))
-    shared = posts.groupBy("col").agg(F.count("*").alias("k")).where("k > 1").select("col")
-    blocks = written(posts.join(shared, "col", "left_semi"), "blocks")
-
-    # whole sets of the classes that share a block with another, read again from their texts
-    wanted = blocks.select("node").distinct().join(classes, "node").select("node", "sig", "of")
+                                                             F.min_by("doc_id", "row").alias("of"), F.min("n").alias("n"),
+                                                             F.min_by(F.struct(F.element_at("prefix", -1).bitwiseXOR(F.lit(-1 << 63)).alias("end"), F.size("prefix").alias("p")), "row").alias("tip")),
+                      "classes")
+
+    # dealt by column once: the same exchange serves the aggregate and the join
+    posts = (rows.where("n > 0").select("row", "n", F.posexplode("prefix").alias("pos", "col"))
+             .select("col", "row", F.col("n").cast("int").alias("n"), F.col("pos").cast("int").alias("pos")).repartition("col"))
+    post = F.struct("row", "n", "pos")
+    shared = posts.groupBy("col").agg(F.min(post).alias("lo"), F.max(post).alias("hi")).where("lo.row != hi.row").select("col")
+    member = rows.where("n > 0").select("row", "sig").join(classes.select("sig", "node"), "sig").select("row", "node")
+    blocks = written(posts.join(shared, "col", "left_semi").join(member, "row").select("col", "node", "n", "pos").distinct(), "blocks")
 
     def whole(batches):
         for b in batches:
             sets = [ordered(shingles(t, size), rank) for t in text_bytes(b)]
             yield {"sig": [xxhash.xxh3_128_digest(s) for s in sets], "cols": _list_array(sets)}
 
-    ids = wanted.select(F.col("of").alias("id")).distinct()
-    texts_again = src.join(ids, src["doc_id"].eqNullSafe(ids["id"]), "left_semi").select("text")
-    sets = written(arrow_rows(texts_again, "sig binary, cols array<bigint>", whole).join(wanted, "sig")
-                   .select("node", "cols").dropDuplicates(["node"]), "columns")
+    # (columns are ordered as unsigned numbers, so tip.end has its sign bit turned)
+    def promising(pairs: DataFrame) -> DataFrame:
+        """Pairs that can reach the overlap by the columns their prefixes share.
+        The prefix that ends first in the common order has no columns left that
+        the rest of the other could hold, so all its matches are counted."""
+        common = (pairs.join(blocks.select(F.col("node").alias("a"), "col"), "a")
+                  .join(blocks.select(F.col("node").alias("b"), "col"), ["b", "col"]).groupBy("a", "b").agg(F.count("*").alias("common")))
+        one, two = (classes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("tip.end").alias(f"e{x}"),
+                                   F.col("tip.p").alias(f"p{x}")) for x in "ab")
+        rest = F.when(F.col("ea") <= F.col("eb"), F.col("na") - F.col("pa")).otherwise(F.col("nb") - F.col("pb"))
+        return (common.join(one, "a").join(two, "b")
+                .where((F.col("common") + rest) * (100 + percent) >= _needed(F.col("na"), F.col("nb"), percent)).select("a", "b"))
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """Whole sets of the classes in the pairs, read again from their texts."""
+        wanted = (pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(classes, "node")
+                  .select("node", "sig", "of"))
+        ids = wanted.select(F.col("of").alias("id")).distinct()
+        texts_again = src.join(ids, src["doc_id"].eqNullSafe(ids["id"]), "left_semi").select("text")
+        return written(arrow_rows(texts_again, "sig binary, cols array<bigint>", whole).join(wanted, "sig")
+                       .select("node", "cols").dropDuplicates(["node"]), "columns")
 
     def reachable(pairs: DataFrame) -> DataFrame:
         """Pairs of a block (a, na, pa, b, nb, pb) that the bounds leave."""
@@ -156,6 +176,7 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Of pairs (a, b) those whose whole sets overlap enough."""
+        sets = sets_of(pairs)
         left, right = sets.select(F.col("node").alias("a"), F.col("cols").alias("x")), \
             sets.select(F.col("node").alias("b"), F.col("cols").alias("y"))
         overlap = F.size(F.array_intersect("x", "y"))
@@ -171,7 +192,7 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
              .select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"),
                      F.col("head.node").alias("b"), F.col("head.n").alias("nb"), F.col("head.pos").alias("pb"))
              .where("a != b"))
-    tried = written(reachable(stars), "star-pairs")
+    tried = written(promising(written(reachable(stars), "star-pairs")), "star-candidates")
     links = written(linked(tried), "star-links")
     part = components(links)
 
@@ -182,7 +203,7 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
     one = own.select("col", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"))
     two = own.select("col", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"))
     rest = reachable(one.join(two, "col").where("a > b and ca != cb")).join(tried, ["a", "b"], "left_anti")
-    more = linked(written(rest, "cross-pairs"))
+    more = linked(written(promising(written(rest, "cross-pairs")), "cross-candidates"))
     final = components(links.unionByName(more))
 
     labels = classes.select("sig", "node", "low").join(final, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

@@ -21,8 +21,9 @@ no burden on a task.  Targets take one row per source through one task.
 
 Edge cases: null and empty texts have size 0 and take nothing; null sources
 are one source, last in the order; a null doc_id is a value like any other; an
-empty table gives an empty result; extra columns are carried as they are, the
-operator's work columns start with ``_mix_``.
+empty table gives an empty result; extra columns are carried as they are, those with
+the names of the result give way to it, and the operator's work columns start
+with ``_mix_``.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from .common import written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, MOST_COPIES = (3, 1, 2), 1.5, 2
+RESULT = ("size", "source_size", "target", "copies", "taken")
 LEVEL_BITS, HASH_LEVELS, ROW_LEVELS = 16, 4, 3
 
 
@@ -80,7 +82,7 @@ def _levels() -> list[Column]:
 def mix(docs: DataFrame, carried: list[str] | None = None) -> DataFrame:
     """The carried columns (default: all) of every row, then ``size,
     source_size, target, copies, taken``."""
-    carried = list(docs.columns if carried is None else carried)
+    carried = [c for c in (docs.columns if carried is None else carried) if c not in RESULT]
     rows = written(docs.select(*carried, n_words(F.col("text")).alias("size"), source_key(F.col("source")).alias("_mix_source"),
                                F.xxhash64("doc_id", "text").alias("_mix_hash"),
                                F.monotonically_increasing_id().alias("_mix_row")), "mix-rows")
