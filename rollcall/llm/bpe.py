@@ -40,7 +40,7 @@ from .common import arrow_rows, texts
 PRE_SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 #: words kept in a worker's table of encoded words; when full it starts anew
-WORD_TABLE = 800_000
+WORD_TABLE = 300_000
 #: longer words are rare and not worth a place in the table
 WORD_TABLE_MAX_LEN = 64
 

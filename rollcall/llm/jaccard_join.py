@@ -44,7 +44,7 @@ from .common import LOWER_BYTES, arrow_rows, text_bytes, written
 from .graph import components
 
 WORDS, PERCENT, LEADERS = 5, 80, 2
-BUCKET_BITS = 16
+BUCKET_BITS = 19
 BUCKETS = 1 << BUCKET_BITS
 _LOW = np.uint64((1 << (64 - BUCKET_BITS)) - 1)
 _SHIFT = np.uint64(64 - BUCKET_BITS)
