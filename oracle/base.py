@@ -88,7 +88,7 @@ FROM supplier s JOIN nation_tenant nt ON s.s_nationkey = nt.n_nationkey""", "nat
 cte("home_school", """
 SELECT s.s_suppkey AS home_school_id, nt.tenant_code, s.s_nationkey AS home_nationkey
 FROM supplier s JOIN nation_tenant nt ON s.s_nationkey = nt.n_nationkey
-WHERE s.s_suppkey BETWEEN 0 AND 9""", "nation_tenant")
+""", "nation_tenant")
 
 cte("stg_calendars", f"""
 SELECT tenant_code, k_school, school_id, c.calendar_code, 2024 AS school_year,
@@ -132,9 +132,9 @@ FROM stg_schools CROSS JOIN (VALUES ('Year Round', DATE '2024-01-01', DATE '2024
     "stg_schools")
 
 cte("customer_home", """
-SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment, c.c_custkey % 10 AS home_school_id,
+SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment, c.c_custkey % (SELECT count(*) FROM supplier) AS home_school_id,
        h.tenant_code, h.home_nationkey
-FROM customer c JOIN home_school h ON c.c_custkey % 10 = h.home_school_id""", "home_school")
+FROM customer c JOIN home_school h ON c.c_custkey % (SELECT count(*) FROM supplier) = h.home_school_id""", "home_school")
 
 cte("stg_students", f"""
 SELECT tenant_code, y.sy AS api_year, y.sy AS school_year, {K('tenant_code', 'c_custkey', 'y.sy')} AS k_student,
@@ -199,12 +199,12 @@ FROM enr_raw""", "enr_raw")
 
 cte("stg_att_events", f"""
 SELECT h.tenant_code, 2024 AS api_year, 2024 AS school_year, {K('h.tenant_code', 'e.user_id', '2024')} AS k_student,
-       {K('h.tenant_code', 'e.user_id % 10')} AS k_school,
-       {K('h.tenant_code', 'e.user_id % 10', '2024',
+       {K('h.tenant_code', 'e.user_id % (SELECT count(*) FROM supplier)')} AS k_school,
+       {K('h.tenant_code', 'e.user_id % (SELECT count(*) FROM supplier)', '2024',
           "CASE WHEN e.event_id % 4 = 0 THEN 'Year Round' WHEN dayofmonth(CAST(e.ts AS DATE)) <= 15 "
           "THEN 'Half 1' ELSE 'Half 2' END")} AS k_session,
        CAST(e.ts AS DATE) AS attendance_event_date, e.event_type AS attendance_event_category,
        e.props AS attendance_event_reason, e.value AS event_duration,
        CAST(NULL AS DOUBLE) AS school_attendance_duration, strftime(e.ts, '%H:%M:%S') AS arrival_time,
        CAST(NULL AS VARCHAR) AS departure_time, 'Classroom' AS educational_environment
-FROM events e JOIN home_school h ON e.user_id % 10 = h.home_school_id""", "home_school")
+FROM events e JOIN home_school h ON e.user_id % (SELECT count(*) FROM supplier) = h.home_school_id""", "home_school")

@@ -46,9 +46,9 @@ JOIN o_dim_subgroup d
 # ---------------------------------------------------------------- programs
 cte("orders_home", """
 SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority,
-       o.o_custkey % 10 AS home_school_id, h.tenant_code, CAST(o.o_orderdate AS DATE) AS begin_date,
+       o.o_custkey % (SELECT count(*) FROM supplier) AS home_school_id, h.tenant_code, CAST(o.o_orderdate AS DATE) AS begin_date,
        CASE WHEN year(o.o_orderdate) >= 1998 THEN 2024 ELSE 2023 END AS school_year
-FROM orders o JOIN home_school h ON o.o_custkey % 10 = h.home_school_id""", "home_school")
+FROM orders o JOIN home_school h ON o.o_custkey % (SELECT count(*) FROM supplier) = h.home_school_id""", "home_school")
 
 cte("stg_programs", f"""
 SELECT tenant_code, {K('tenant_code', 'o_orderpriority')} AS k_program, o_orderpriority AS program_name,
@@ -197,8 +197,8 @@ SELECT l AS letter_grade, CAST(p AS DECIMAL(3,2)) AS unweighted_gpa_points, x AS
 FROM (VALUES ('a', 4.00, false, false, 1), ('n', 1.00, false, true, 2)) t(l, p, x, d, i)""")
 
 cte("part_home", """
-SELECT p.p_partkey, p.p_name, p.p_brand, p.p_type, p.p_size, p.p_partkey % 10 AS home_school_id, h.tenant_code
-FROM part p JOIN home_school h ON p.p_partkey % 10 = h.home_school_id""", "home_school")
+SELECT p.p_partkey, p.p_name, p.p_brand, p.p_type, p.p_size, p.p_partkey % (SELECT count(*) FROM supplier) AS home_school_id, h.tenant_code
+FROM part p JOIN home_school h ON p.p_partkey % (SELECT count(*) FROM supplier) = h.home_school_id""", "home_school")
 
 cte("o_dim_course", f"""
 SELECT {K('p.tenant_code', 'p.p_partkey')} AS k_course, {K('p.tenant_code', 'p.home_school_id')} AS k_school,
@@ -227,16 +227,16 @@ WHERE s.k_school IN (SELECT k_school FROM o_dim_school)""", "stg_schools", "o_di
 
 cte("stg_grades", f"""
 SELECT hs.tenant_code, 2024 AS school_year, {K('hs.tenant_code', 'o.o_custkey', '2024')} AS k_student,
-       {K('hs.tenant_code', 'o.o_custkey % 10')} AS k_school,
+       {K('hs.tenant_code', 'o.o_custkey % (SELECT count(*) FROM supplier)')} AS k_school,
        {K('hp.tenant_code', 'l.l_partkey', "'S1'")} AS k_course_section,
-       {K('hs.tenant_code', 'o.o_custkey % 10', '2024',
+       {K('hs.tenant_code', 'o.o_custkey % (SELECT count(*) FROM supplier)', '2024',
           "CASE WHEN l.l_linenumber % 2 = 0 THEN 'Third Quarter' ELSE 'Fourth Quarter' END")} AS k_grading_period,
        CASE WHEN l.l_linestatus = 'F' THEN 'Final' ELSE 'Grading Period' END AS grade_type,
        l.l_returnflag AS letter_grade_earned, l.l_quantity AS numeric_grade_earned
 FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey
-JOIN home_school hs ON o.o_custkey % 10 = hs.home_school_id
-JOIN home_school hp ON l.l_partkey % 10 = hp.home_school_id""", "home_school")
+JOIN home_school hs ON o.o_custkey % (SELECT count(*) FROM supplier) = hs.home_school_id
+JOIN home_school hp ON l.l_partkey % (SELECT count(*) FROM supplier) = hp.home_school_id""", "home_school")
 
 cte("o_fct_grades", """
 SELECT g.k_student, g.k_course_section, g.k_school, g.k_grading_period, g.grade_type, g.tenant_code, g.school_year,
@@ -253,10 +253,10 @@ LEFT JOIN xwalk_letter_grades x ON lower(g.letter_grade_earned) = x.letter_grade
 
 # ---------------------------------------------------------------- discipline
 cte("error_events", """
-SELECT e.event_id, e.ts, e.user_id, e.value, e.user_id % 10 AS home_school_id, h.tenant_code,
+SELECT e.event_id, e.ts, e.user_id, e.value, e.user_id % (SELECT count(*) FROM supplier) AS home_school_id, h.tenant_code,
        CASE WHEN e.value >= 200 THEN 'Major' WHEN e.value >= 50 THEN 'Moderate' ELSE 'Minor' END AS behavior_type,
        CAST(e.ts AS DATE) AS incident_date
-FROM events e JOIN home_school h ON e.user_id % 10 = h.home_school_id
+FROM events e JOIN home_school h ON e.user_id % (SELECT count(*) FROM supplier) = h.home_school_id
 WHERE e.event_type = 'error'""", "home_school")
 
 cte("stg_incident_behaviors", f"""
@@ -498,8 +498,8 @@ SELECT hs.tenant_code, 2024 AS school_year, {K('hs.tenant_code', 'o.o_custkey',
        l.l_linenumber = 1 AS is_homeroom
 FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey
-JOIN home_school hs ON o.o_custkey % 10 = hs.home_school_id
-JOIN home_school hp ON l.l_partkey % 10 = hp.home_school_id""", "home_school")
+JOIN home_school hs ON o.o_custkey % (SELECT count(*) FROM supplier) = hs.home_school_id
+JOIN home_school hp ON l.l_partkey % (SELECT count(*) FROM supplier) = hp.home_school_id""", "home_school")
 
 _ACTIVE_SEC = f"""CASE WHEN x.school_year = max(x.school_year) OVER (PARTITION BY x.tenant_code)
                  AND (x.end_date IS NULL OR x.end_date >= {AS_OF}) AND x.begin_date <= {AS_OF}
@@ -695,8 +695,8 @@ SELECT tenant_code, api_year, k_student, k_student_xyear, ed_org_id,
        TRY_CAST(reading_level AS INTEGER) AS reading_level
 FROM (SELECT c.tenant_code, 2024 AS api_year, {K('c.tenant_code', 'c.c_custkey', '2024')} AS k_student,
              {K('c.tenant_code', 'c.c_custkey')} AS k_student_xyear, CAST(c.home_school_id AS VARCHAR) AS ed_org_id,
-             max(CASE WHEN i.n = 'has_iep' THEN i.v END) AS has_iep,
-             max(CASE WHEN i.n = 'reading_level' THEN i.v END) AS reading_level
+             min(CASE WHEN i.n = 'has_iep' THEN i.v END) AS has_iep,
+             min(CASE WHEN i.n = 'reading_level' THEN i.v END) AS reading_level
       FROM customer_home c
       JOIN (SELECT c_custkey AS k, 'has_iep' AS n,
                    CASE c_custkey % 4 WHEN 0 THEN 'Y' WHEN 1 THEN 'false' WHEN 2 THEN 'maybe' ELSE '1.0' END AS v
@@ -1101,8 +1101,8 @@ SELECT hu.tenant_code, 2024 AS school_year, {K('hu.tenant_code', 'e.user_id', '2
        CASE WHEN e.event_type = 'view' THEN 'Tardy' ELSE e.event_type END AS attendance_event_category,
        CAST(e.event_id AS VARCHAR) AS attendance_event_reason
 FROM events e
-JOIN home_school hu ON e.user_id % 10 = hu.home_school_id
-JOIN home_school hp ON (e.event_id % 200) % 10 = hp.home_school_id
+JOIN home_school hu ON e.user_id % (SELECT count(*) FROM supplier) = hu.home_school_id
+JOIN home_school hp ON (e.event_id % 200) % (SELECT count(*) FROM supplier) = hp.home_school_id
 WHERE e.event_type IN ('click', 'view')""", "home_school")
 
 cte("o_fct_section_events", """
@@ -1112,7 +1112,7 @@ SELECT e.k_student, s.k_student_xyear, e.k_course_section, c.k_school, e.tenant_
 FROM stg_section_events e
 JOIN o_dim_student s ON e.k_student = s.k_student
 JOIN o_dim_course_section c ON e.k_course_section = c.k_course_section
-LEFT JOIN xwalk_attendance_events x ON e.attendance_event_category = x.attendance_event_descriptor""",
+JOIN xwalk_attendance_events x ON e.attendance_event_category = x.attendance_event_descriptor""",
     "stg_section_events", "o_dim_student", "o_dim_course_section", "xwalk_attendance_events")
 
 cte("o_dq_d10", """
@@ -1143,8 +1143,8 @@ FROM (SELECT {K('hp.tenant_code', 'l.l_partkey')} AS k_course,
              l.l_quantity / 10.0 AS earned_credits, l.l_returnflag AS final_letter_grade_earned
       FROM lineitem l
       JOIN orders o ON l.l_orderkey = o.o_orderkey
-      JOIN home_school hu ON o.o_custkey % 10 = hu.home_school_id
-      JOIN home_school hp ON l.l_partkey % 10 = hp.home_school_id) t
+      JOIN home_school hu ON o.o_custkey % (SELECT count(*) FROM supplier) = hu.home_school_id
+      JOIN home_school hp ON l.l_partkey % (SELECT count(*) FROM supplier) = hp.home_school_id) t
 JOIN o_fct_academic_record r ON t.k_student_academic_record = r.k_student_academic_record
 JOIN o_dim_course c ON t.k_course = c.k_course""", "home_school", "o_fct_academic_record", "o_dim_course")
 
@@ -1490,16 +1490,16 @@ FROM (SELECT DISTINCT tenant_code, p_type FROM part_home) t""", "part_home")
 cte("o_fct_ls_grades", f"""
 SELECT g.* FROM (
   SELECT hs.tenant_code, {K('hs.tenant_code', 'o.o_custkey', '2024')} AS k_student,
-         {K('hs.tenant_code', 'o.o_custkey % 10')} AS k_school,
+         {K('hs.tenant_code', 'o.o_custkey % (SELECT count(*) FROM supplier)')} AS k_school,
          {K('hp.tenant_code', 'l.l_partkey', "'S1'")} AS k_course_section,
-         {K('hs.tenant_code', 'o.o_custkey % 10', '2024',
+         {K('hs.tenant_code', 'o.o_custkey % (SELECT count(*) FROM supplier)', '2024',
             "CASE WHEN l.l_linenumber % 2 = 0 THEN 'Third Quarter' ELSE 'Fourth Quarter' END")} AS k_grading_period,
          {K('hp.tenant_code', "'LS'", 'p.p_type')} AS k_learning_standard,
          CASE WHEN l.l_linestatus = 'F' THEN 'Final' ELSE 'Grading Period' END AS grade_type,
          l.l_returnflag AS learning_standard_letter_grade_earned
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
-  JOIN home_school hs ON o.o_custkey % 10 = hs.home_school_id
-  JOIN home_school hp ON l.l_partkey % 10 = hp.home_school_id) g
+  JOIN home_school hs ON o.o_custkey % (SELECT count(*) FROM supplier) = hs.home_school_id
+  JOIN home_school hp ON l.l_partkey % (SELECT count(*) FROM supplier) = hp.home_school_id) g
 JOIN o_dim_student s ON g.k_student = s.k_student
 JOIN o_dim_school sc ON g.k_school = sc.k_school
 JOIN o_dim_course_section c ON g.k_course_section = c.k_course_section

@@ -4,7 +4,7 @@ Physical strategy is left to Catalyst + AQE (``spark.sql.adaptive.*``):
 AQE turns a sort-merge join into a broadcast join when the measured shuffle
 output of one side is under the threshold, and splits skewed partitions of
 the big side.  We only force ``broadcast`` where the size is bounded by
-construction (seed crosswalks) or checked by ``broadcast_if_small``.
+construction (seed crosswalks).
 """
 
 from __future__ import annotations
@@ -15,17 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check is a bounded probe (``limit(max_rows + 1).count()``), so it
-    never scans more than ``max_rows + 1`` rows of output.  Above the bound the
-    relation is left to a shuffled join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def seed(df: DataFrame) -> DataFrame:
     """Mark a seed crosswalk (bounded, user-edited lookup) for broadcast."""
     return F.broadcast(df)

@@ -17,18 +17,11 @@ from ..functions.columns import slugify
 
 # a crosswalk that names columns is a hand-edited seed; more values than this
 # would be a configuration error, not data, so it is refused instead of collected.
-MAX_CROSSWALK_VALUES = 5000
-
-
 def crosswalk_values(df: DataFrame, column: str, where: Column | None = None) -> list:
-    """Ordered distinct non-NULL values of a crosswalk column (bounded)."""
+    """Ordered distinct non-NULL values of a crosswalk column."""
     if where is not None:
         df = df.filter(where)
-    rows = (df.select(column).where(F.col(column).isNotNull()).distinct()
-            .orderBy(column).limit(MAX_CROSSWALK_VALUES + 1).collect())
-    if len(rows) > MAX_CROSSWALK_VALUES:
-        raise ValueError(f"crosswalk column {column!r} has more than {MAX_CROSSWALK_VALUES} values")
-    return [r[0] for r in rows]
+    return [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect()]
 
 
 def is_empty(df: DataFrame) -> bool:

@@ -217,13 +217,13 @@ def msr_student_cumulative_attendance(wh) -> DataFrame:
 @dataset("fct_student_section_attendance_event",
          grain=("k_student", "k_course_section", "attendance_event_category", "attendance_event_date"))
 def fct_student_section_attendance_event(wh) -> DataFrame:
-    """Section events of known students and sections (J1) with the absence
-    lookup (J2, unmapped codes keep a NULL share)."""
+    """Section events of known students and sections (J1) whose code the
+    absence lookup knows (J2)."""
     e = wh("stg_ef3__student_section_attendance_events")
     xw = seed(wh("xwalk_attendance_events"))
     j = (e.join(wh("dim_student").select("k_student", "k_student_xyear"), "k_student")
          .join(wh("dim_course_section").select("k_course_section", "k_school"), "k_course_section")
-         .join(xw, e.attendance_event_category == xw.attendance_event_descriptor, "left"))
+         .join(xw, e.attendance_event_category == xw.attendance_event_descriptor))
     return j.select("k_student", "k_student_xyear", "k_course_section", "k_school", "tenant_code", "school_year",
                     "attendance_event_date", "attendance_event_category", "attendance_event_reason", "is_absent",
                     "attendance_excusal_status")

@@ -86,7 +86,7 @@ def course_char_combined_wide(wh) -> DataFrame:
     from ..operators.sets import sorted_array
     long = wh("bld_course_char__combined_long")
     xw = seed(wh("xwalk_course_level_characteristics"))
-    pairs = [(r[0], r[1]) for r in xw.orderBy("indicator_name").limit(5001).collect()]
+    pairs = [(r[0], r[1]) for r in xw.orderBy("indicator_name").collect()]
     arr = long.groupBy("k_course_section").agg(sorted_array("course_level_characteristic")
                                                 .alias("course_level_characteristics"))
     flags = pivot_flags(long, ["k_course_section"], "course_level_characteristic", pairs)

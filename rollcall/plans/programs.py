@@ -45,7 +45,7 @@ def student_programs(wh) -> DataFrame:
     today = wh.config.today()
     xw = seed(wh("xwalk_student_programs"))
     types = [tuple(r) for r in xw.select("indicator_name", "is_active", "is_annual", "is_ever").distinct()
-             .orderBy("indicator_name").limit(1000).collect()]
+             .orderBy("indicator_name").collect()]
     st = wh("stg_ef3__student_program_associations").join(xw, "program_name")
     active = (F.col("program_enroll_begin_date") <= today) & (
         F.col("program_enroll_end_date").isNull() | (F.col("program_enroll_end_date") > today))

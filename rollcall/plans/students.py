@@ -135,11 +135,11 @@ def student_indicators(wh) -> DataFrame:
     from ..operators.reshape import cast_by_type
     xw = seed(wh("xwalk_student_indicators"))
     ind = wh("stg_ef3__stu_ed_org__indicators")
-    j = ind.join(xw, ind.indicator_name == xw.original_indicator_name)
+    j = ind.join(xw, ind.indicator_name == xw.original_indicator_name, "left")
     names = crosswalk_values(xw, "dim_stu_name")
     wide = pivot_values(j, ["tenant_code", "api_year", "k_student", "k_student_xyear", "ed_org_id"], "dim_stu_name",
-                        names, "indicator_value", agg="max")
-    types = {r[0]: r[1] for r in xw.select("dim_stu_name", "type").distinct().limit(5001).collect()}
+                        names, "indicator_value", agg="min")
+    types = {r[0]: r[1] for r in xw.select("dim_stu_name", "type").distinct().collect()}
     return cast_by_type(wide, types)
 
 

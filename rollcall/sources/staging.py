@@ -24,13 +24,14 @@ identification codes            part (type -> brand)
 ==============================  ==============================================
 
 Every relation is a lazy DataFrame: column pruning and filters reach the
-parquet scans.  The "home school" lookup joins at most ``N_HOME_SCHOOLS`` rows
-(filtered by key), so it is broadcast by construction.
+parquet scans.  The "home school" lookup has one row per supplier and is left
+to a shuffled or runtime-broadcast join.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,6 @@ SCHOOL_YEAR = 2024
 PRIOR_YEAR = 2023
 CAL_START = dt.date(2024, 1, 1)
 CAL_END = dt.date(2024, 1, 31)
-N_HOME_SCHOOLS = 10
 # fixed values: sessions (name, begin, end, total instructional days)
 SESSIONS = [
     ("Year Round", dt.date(2024, 1, 1), dt.date(2024, 1, 31), 21),
@@ -170,14 +170,16 @@ class Staging:
              .otherwise("High School").alias("school_category"),
         )
 
+    @cached_property
+    def n_home_schools(self) -> int:
+        """Number of schools; keys modulo this number name a school."""
+        return self.t("supplier").count()
+
     def _home_school(self) -> DataFrame:
-        """The schools students are assigned to: supplier keys 0..N-1 (<= N rows)."""
-        s = (self.t("supplier").select("s_suppkey", "s_nationkey")
-             .filter(F.col("s_suppkey").between(0, N_HOME_SCHOOLS - 1)))
+        """Every school, with its tenant: students are assigned to all of them."""
         nt = self("nation_tenant").select(F.col("n_nationkey").alias("s_nationkey"), "tenant_code")
-        # at most N_HOME_SCHOOLS rows (supplier keys are unique): broadcast by construction
-        return F.broadcast(s.join(nt, "s_nationkey").select(
-            F.col("s_suppkey").alias("home_school_id"), "tenant_code", F.col("s_nationkey").alias("home_nationkey")))
+        return self.t("supplier").select("s_suppkey", "s_nationkey").join(nt, "s_nationkey").select(
+            F.col("s_suppkey").alias("home_school_id"), "tenant_code", F.col("s_nationkey").alias("home_nationkey"))
 
     # ---- calendars and sessions ------------------------------------------
     def _stg_ef3__calendars(self) -> DataFrame:
@@ -234,7 +236,7 @@ class Staging:
     # ---- students and enrollment ----------------------------------------
     def _customer_home(self) -> DataFrame:
         c = self.t("customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-        c = c.withColumn("home_school_id", _mod("c_custkey", N_HOME_SCHOOLS))
+        c = c.withColumn("home_school_id", _mod("c_custkey", self.n_home_schools))
         return c.join(self("home_school"), "home_school_id")
 
     def _stg_ef3__students(self) -> DataFrame:
@@ -341,7 +343,7 @@ class Staging:
 
     def _stg_ef3__student_school_attendance_events(self) -> DataFrame:
         ev = self.t("events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-        ev = ev.withColumn("home_school_id", _mod("user_id", N_HOME_SCHOOLS)).join(self("home_school"), "home_school_id")
+        ev = ev.withColumn("home_school_id", _mod("user_id", self.n_home_schools)).join(self("home_school"), "home_school_id")
         day = F.to_date("ts")
         session = (F.when(_mod("event_id", 4) == 0, "Year Round")
                    .when(F.dayofmonth(day) <= 15, "Half 1").otherwise("Half 2"))
@@ -364,7 +366,7 @@ class Staging:
     def _orders_home(self) -> DataFrame:
         o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                                     "o_orderpriority")
-        o = o.withColumn("home_school_id", _mod("o_custkey", N_HOME_SCHOOLS)).join(self("home_school"), "home_school_id")
+        o = o.withColumn("home_school_id", _mod("o_custkey", self.n_home_schools)).join(self("home_school"), "home_school_id")
         return (o.withColumn("begin_date", F.to_date("o_orderdate"))
                 .withColumn("school_year", F.when(F.year("o_orderdate") >= 1998, F.lit(SCHOOL_YEAR))
                             .otherwise(F.lit(PRIOR_YEAR))))
@@ -464,7 +466,7 @@ class Staging:
     # ---- courses, sections, grading periods, grades (part, lineitem) --------
     def _part_home(self) -> DataFrame:
         p = self.t("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-        return p.withColumn("home_school_id", _mod("p_partkey", N_HOME_SCHOOLS)).join(self("home_school"), "home_school_id")
+        return p.withColumn("home_school_id", _mod("p_partkey", self.n_home_schools)).join(self("home_school"), "home_school_id")
 
     def _stg_ef3__courses(self) -> DataFrame:
         p = self("part_home")
@@ -504,8 +506,8 @@ class Staging:
         stu_home = hs.select(F.col("home_school_id").alias("stu_school"), F.col("tenant_code"))
         part_home = hs.select(F.col("home_school_id").alias("part_school"), F.col("tenant_code").alias("part_tenant"))
         g = (li.join(o, "l_orderkey")
-             .withColumn("stu_school", _mod("o_custkey", N_HOME_SCHOOLS))
-             .withColumn("part_school", _mod("l_partkey", N_HOME_SCHOOLS))
+             .withColumn("stu_school", _mod("o_custkey", self.n_home_schools))
+             .withColumn("part_school", _mod("l_partkey", self.n_home_schools))
              .join(stu_home, "stu_school").join(part_home, "part_school"))
         period = F.when(_mod("l_linenumber", 2) == 0, F.lit(GRADING_PERIODS[0][0])).otherwise(F.lit(GRADING_PERIODS[1][0]))
         return g.select(
@@ -523,7 +525,7 @@ class Staging:
     def _error_events(self) -> DataFrame:
         ev = (self.t("events").select("event_id", "ts", "user_id", "event_type", "value")
               .filter(F.col("event_type") == "error"))
-        ev = ev.withColumn("home_school_id", _mod("user_id", N_HOME_SCHOOLS)).join(self("home_school"), "home_school_id")
+        ev = ev.withColumn("home_school_id", _mod("user_id", self.n_home_schools)).join(self("home_school"), "home_school_id")
         band = F.when(F.col("value") >= 200, "Major").when(F.col("value") >= 50, "Moderate").otherwise("Minor")
         return ev.withColumn("behavior_type", band).withColumn("incident_date", F.to_date("ts"))
 
@@ -661,9 +663,9 @@ class Staging:
         hs = self("home_school")
         j = (li.join(o, "l_orderkey")
              .join(hs.select(F.col("home_school_id").alias("stu_school"), "tenant_code"),
-                   _mod("o_custkey", N_HOME_SCHOOLS) == F.col("stu_school"))
+                   _mod("o_custkey", self.n_home_schools) == F.col("stu_school"))
              .join(hs.select(F.col("home_school_id").alias("part_school"), F.col("tenant_code").alias("part_tenant")),
-                   _mod("l_partkey", N_HOME_SCHOOLS) == F.col("part_school")))
+                   _mod("l_partkey", self.n_home_schools) == F.col("part_school")))
         begin = F.date_add(F.lit(CAL_START), _mod("l_orderkey", 10).cast("int"))
         return j.select(
             "tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
@@ -1068,9 +1070,9 @@ class Staging:
               .filter(F.col("event_type").isin("click", "view")))
         hs = self("home_school")
         j = (ev.join(hs.select(F.col("home_school_id").alias("u_school"), "tenant_code"),
-                     _mod("user_id", N_HOME_SCHOOLS) == F.col("u_school"))
+                     _mod("user_id", self.n_home_schools) == F.col("u_school"))
              .join(hs.select(F.col("home_school_id").alias("p_school"), F.col("tenant_code").alias("p_tenant")),
-                   _mod(_mod("event_id", 200), N_HOME_SCHOOLS) == F.col("p_school")))
+                   _mod(_mod("event_id", 200), self.n_home_schools) == F.col("p_school")))
         return j.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
                         key("tenant_code", "user_id", F.lit(SCHOOL_YEAR)).alias("k_student"),
                         key("p_tenant", _mod("event_id", 200), F.lit("S1")).alias("k_course_section"),
@@ -1112,9 +1114,9 @@ class Staging:
         hs = self("home_school")
         j = (li.join(o, "l_orderkey")
              .join(hs.select(F.col("home_school_id").alias("u_school"), "tenant_code"),
-                   _mod("o_custkey", N_HOME_SCHOOLS) == F.col("u_school"))
+                   _mod("o_custkey", self.n_home_schools) == F.col("u_school"))
              .join(hs.select(F.col("home_school_id").alias("p_school"), F.col("tenant_code").alias("p_tenant")),
-                   _mod("l_partkey", N_HOME_SCHOOLS) == F.col("p_school")))
+                   _mod("l_partkey", self.n_home_schools) == F.col("p_school")))
         term = F.when(_mod("l_linenumber", 2) == 1, F.lit("Fall")).otherwise(F.lit("Spring"))
         return j.select("tenant_code",
                         key("p_tenant", "l_partkey").alias("k_course"),
@@ -1363,9 +1365,9 @@ class Staging:
         hs = self("home_school")
         j = (li.join(o, "l_orderkey").join(pt, "l_partkey")
              .join(hs.select(F.col("home_school_id").alias("stu_school"), "tenant_code"),
-                   _mod("o_custkey", N_HOME_SCHOOLS) == F.col("stu_school"))
+                   _mod("o_custkey", self.n_home_schools) == F.col("stu_school"))
              .join(hs.select(F.col("home_school_id").alias("part_school"), F.col("tenant_code").alias("part_tenant")),
-                   _mod("l_partkey", N_HOME_SCHOOLS) == F.col("part_school")))
+                   _mod("l_partkey", self.n_home_schools) == F.col("part_school")))
         period = F.when(_mod("l_linenumber", 2) == 0, F.lit(GRADING_PERIODS[0][0])).otherwise(F.lit(GRADING_PERIODS[1][0]))
         return j.select(
             "tenant_code", key("tenant_code", "o_custkey", F.lit(SCHOOL_YEAR)).alias("k_student"),
