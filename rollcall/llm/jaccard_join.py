@@ -12,6 +12,9 @@ is cut down by bounds before overlaps are counted:
 * with sets of size n, two documents can only reach the similarity if they
   meet among their first ``n - ceil(t n) + 1`` columns, so only these are
   multiplied, one block per column;
+* a row leaves a block in which no other row's size is near enough to its own.
+  For each block one 64-bit mask holds the size bands met, so this needs no
+  pairs; a pair that can be similar stays in all the blocks it shares;
 * within a block a pair is dropped if its sizes, or the columns that either
   has left from the meeting point on, cannot reach the overlap needed (a
   similar pair passes in the block of the first column it shares);
@@ -33,6 +36,8 @@ has a null id); an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -46,6 +51,10 @@ from .graph import components
 WORDS, PERCENT, LEADERS = 5, 80, 2
 BUCKET_BITS = 19
 BUCKETS = 1 << BUCKET_BITS
+#: size bands for each factor of e; bands are counted modulo the 64 bits of a mask
+BANDS = 6
+#: bits of the filter that tells which texts may have to be read again
+FILTER_BITS = 1 << 20
 _LOW = np.uint64((1 << (64 - BUCKET_BITS)) - 1)
 _SHIFT = np.uint64(64 - BUCKET_BITS)
 _SEEDS = np.random.default_rng(6).integers(1, 2**63, size=64, dtype=np.uint64) | np.uint64(1)
@@ -107,6 +116,42 @@ def _needed(a: Column, b: Column, percent: int) -> Column:
     return F.lit(percent) * (a + b)
 
 
+def _bits(name: str, value: Column, by: Column) -> Column:
+    return F.call_function(name, value, by)
+
+
+def _band(n: Column) -> Column:
+    """The bit of a size's band."""
+    return _bits("shiftleft", F.lit(1).cast("long"), F.pmod(F.floor(F.log(n) * BANDS).cast("int"), F.lit(64)))
+
+
+def _near_bands(n: Column, percent: int) -> Column:
+    """Bits of all bands whose sizes can reach the similarity with a set of n."""
+    reach, slack = math.log(100 / percent) * BANDS, 1e-6
+    if 2 * reach + 2 > 62:
+        return F.lit(-1).cast("long")
+    low = F.floor(F.log(n) * BANDS - reach - slack).cast("int")
+    width = F.floor(F.log(n) * BANDS + reach + slack).cast("int") - low + 1
+    run = _bits("shiftleft", F.lit(1).cast("long"), width) - 1
+    turn = F.pmod(low, F.lit(64))  # a shift by 64 is none, so no turn leaves the run as it is
+    return _bits("shiftleft", run, turn).bitwiseOR(_bits("shiftrightunsigned", run, 64 - turn))
+
+
+def _crowded(n: Column, percent: int) -> Column:
+    """Has the block (its ``k`` members, the ``bands`` met and the ``odd``
+    ones, met an odd number of times) a second member near size n?  May say
+    yes where there is none, never the reverse."""
+    own, twice = _band(n), F.col("bands").bitwiseAND(F.bitwise_not("odd"))
+    others = F.col("bands").bitwiseAND(_near_bands(n, percent)).bitwiseAND(F.bitwise_not(own))
+    # members not explained by one for each band and one more for each even one: some band has three
+    many = F.col("k") > F.bit_count("bands") + F.bit_count(twice)
+    return (others != 0) | (twice.bitwiseAND(own) != 0) | many
+
+
+def _id_bucket(c: Column) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)).cast("int")
+
+
 def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, id_column: str = "doc_id",
                        text_column: str = "text") -> DataFrame:
     """``(id, n_shingles, component_id)``, one row per document."""
@@ -126,23 +171,26 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
             at += len(sets)
 
     rows = written(arrow_rows(src, f"doc_id {kind}, row bigint, n bigint, sig binary, prefix array<bigint>", prefixes), "sets")
-    classes = written(rows.where("n > 0").groupBy("sig").agg(F.min("row").alias("node"), F.min("doc_id").alias("low"),
-                                                             F.min_by("doc_id", "row").alias("of"), F.min("n").alias("n"),
-                                                             F.min_by(F.struct(F.element_at("prefix", -1).bitwiseXOR(F.lit(-1 << 63)).alias("end"), F.size("prefix").alias("p")), "row").alias("tip")),
-                      "classes")
+    turned = F.element_at("prefix", -1).bitwiseXOR(F.lit(-1 << 63))
+    classes = written(rows.where("n > 0").groupBy("sig").agg(
+        F.min("row").alias("node"), F.min("doc_id").alias("low"), F.min_by("doc_id", "row").alias("of"), F.min("n").alias("n"),
+        F.min_by("prefix", "row").alias("prefix"))
+        .withColumn("tip", F.struct(turned.alias("end"), F.size("prefix").alias("p"))), "classes")
 
     # dealt by column once: the same exchange serves the aggregate and the join
-    posts = (rows.where("n > 0").select("row", "n", F.posexplode("prefix").alias("pos", "col"))
-             .select("col", "row", F.col("n").cast("int").alias("n"), F.col("pos").cast("int").alias("pos")).repartition("col"))
-    post = F.struct("row", "n", "pos")
-    shared = posts.groupBy("col").agg(F.min(post).alias("lo"), F.max(post).alias("hi")).where("lo.row != hi.row").select("col")
-    member = rows.where("n > 0").select("row", "sig").join(classes.select("sig", "node"), "sig").select("row", "node")
-    blocks = written(posts.join(shared, "col", "left_semi").join(member, "row").select("col", "node", "n", "pos").distinct(), "blocks")
-
-    def whole(batches):
-        for b in batches:
-            sets = [ordered(shingles(t, size), rank) for t in text_bytes(b)]
-            yield {"sig": [xxhash.xxh3_128_digest(s) for s in sets], "cols": _list_array(sets)}
+    posts = (classes.select("node", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "col"))
+             .select("col", "node", "n", "pos").repartition("col"))
+    met = posts.groupBy("col").agg(F.count("*").alias("k"), F.bit_or(_band(F.col("n"))).alias("bands"),
+                                   F.bit_xor(_band(F.col("n"))).alias("odd")).where("k > 1")
+    blocks = written(posts.join(met, "col").where(_crowded(F.col("n"), percent)).select("col", "node", "n", "pos"), "blocks")
+
+    def whole(wanted_buckets):
+        def run(batches):
+            for b in batches:
+                b = b.filter(pa.array(wanted_buckets[b.column("bucket").to_numpy()]))
+                sets = [ordered(shingles(t, size), rank) for t in text_bytes(b)]
+                yield {"sig": [xxhash.xxh3_128_digest(s) for s in sets], "cols": _list_array(sets)}
+        return run
 
     # (columns are ordered as unsigned numbers, so tip.end has its sign bit turned)
     def promising(pairs: DataFrame) -> DataFrame:
@@ -158,12 +206,15 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
                 .where((F.col("common") + rest) * (100 + percent) >= _needed(F.col("na"), F.col("nb"), percent)).select("a", "b"))
 
     def sets_of(pairs: DataFrame) -> DataFrame:
-        """Whole sets of the classes in the pairs, read again from their texts."""
-        wanted = (pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(classes, "node")
-                  .select("node", "sig", "of"))
-        ids = wanted.select(F.col("of").alias("id")).distinct()
-        texts_again = src.join(ids, src["doc_id"].eqNullSafe(ids["id"]), "left_semi").select("text")
-        return written(arrow_rows(texts_again, "sig binary, cols array<bigint>", whole).join(wanted, "sig")
+        """Whole sets of the classes in the pairs, read again from their texts.
+        A filter of ``FILTER_BITS`` bits over the ids keeps most other texts
+        out; the join by the set's digest is the exact check."""
+        wanted = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(classes, "node")
+                         .select("node", "sig", "of"), "wanted")
+        buckets = np.zeros(FILTER_BITS, dtype=bool)
+        buckets[wanted.select(_id_bucket(F.col("of")).alias("bucket")).distinct().toArrow().column("bucket").to_numpy()] = True
+        again = src.select("text", _id_bucket(F.col("doc_id")).alias("bucket"))
+        return written(arrow_rows(again, "sig binary, cols array<bigint>", whole(buckets)).join(wanted, "sig")
                        .select("node", "cols").dropDuplicates(["node"]), "columns")
 
     def reachable(pairs: DataFrame) -> DataFrame:
