@@ -15,8 +15,9 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
 #: bytes.translate table that lower-cases A-Z and leaves every other byte alone
 LOWER_BYTES = bytes.maketrans(ASCII_UPPER.encode(), ASCII_LOWER.encode())
-#: rows handed to a Python function at once; Spark's own batches hold ten times as many
-PIECE_ROWS = 1000
+#: rows of an Arrow batch; Spark's default, ten times as many, needs much
+#: memory outside the heap on both sides where texts are long
+BATCH_ROWS = 1000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,17 +46,20 @@ def ascii_lower(c: Column) -> Column:
 def arrow_rows(df: DataFrame, schema: str,
                fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]) -> DataFrame:
     """``mapInArrow`` where ``fn`` yields one dict of equally long columns per
-    batch; it gets batches in pieces, so its working memory stays small."""
+    batch.  Sets the session's batch size to ``BATCH_ROWS``."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches):
-        for cols in fn(b.slice(i, PIECE_ROWS) for b in batches for i in range(0, max(1, b.num_rows), PIECE_ROWS)):
+        for cols in fn(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[f.name], type=f.type) if not isinstance(cols[f.name], pa.Array) else cols[f.name]
                  for f in arrow], schema=arrow)
+        # workers are reused, so hand back what this task no longer needs
+        pa.default_memory_pool().release_unused()
 
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(run, schema)
 
 
