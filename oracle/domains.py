@@ -301,7 +301,7 @@ SELECT tenant_code, 2024 AS school_year, 2024 AS api_year, {K('tenant_code', 'us
        'T' || CAST(user_id % 7 AS VARCHAR) AS staff_unique_id,
        CAST(event_id AS VARCHAR) AS incident_id, CAST(home_school_id AS VARCHAR) AS school_id,
        CASE WHEN event_id % 5 <> 0 THEN behavior_type END AS link_behavior_type
-FROM error_events WHERE event_id % 2 = 0""", "error_events")
+FROM error_events""", "error_events")
 
 cte("o_action_behaviors", f"""
 SELECT a.k_student, a.k_student_xyear, a.discipline_action_id, a.discipline_date,
@@ -314,9 +314,10 @@ JOIN stg_student_behaviors b
 GROUP BY 1, 2, 3, 4""", "stg_discipline_actions", "stg_student_behaviors")
 
 cte("o_fct_discipline_actions", f"""
-SELECT *, row_number() OVER (PARTITION BY k_student, k_discipline_actions_event
-                             ORDER BY severity_order ASC NULLS LAST, discipline_action ASC NULLS LAST) = 1
-            AS is_most_severe
+SELECT *, CASE WHEN severity_order IS NOT NULL THEN
+            row_number() OVER (PARTITION BY k_student, k_student_xyear, k_school, k_discipline_actions_event
+                               ORDER BY severity_order DESC NULLS LAST, discipline_action ASC NULLS LAST) = 1 END
+            AS is_most_severe_action
 FROM (
   SELECT a.k_student, a.k_student_xyear, coalesce(r.k_school, s.k_school) AS k_school,
          s.k_school AS k_school__assignment, r.k_school AS k_school__responsibility, a.school_year,
@@ -335,7 +336,7 @@ FROM (
    AND a.discipline_action_id = l.discipline_action_id AND a.discipline_date = l.discipline_date
   JOIN (SELECT 'first' AS which UNION ALL SELECT 'warning') w ON w.which = 'first' OR a.has_warning
   CROSS JOIN LATERAL (SELECT CASE WHEN w.which = 'first' THEN a.first_action ELSE 'Warning' END AS action) d
-  LEFT JOIN (VALUES ('Suspension', 1, true, false, false, false), ('Detention', 2, false, true, false, false))
+  LEFT JOIN (VALUES ('Suspension', 2, true, false, false, false), ('Detention', 1, false, true, false, false))
        x(discipline_action, severity_order, is_oss, is_iss, is_exp, is_minor) ON d.action = x.discipline_action
   WHERE a.assignment_school_id IS NOT NULL OR a.responsibility_school_id IS NOT NULL
 ) t""", "stg_discipline_actions", "o_dim_student", "o_dim_school", "o_action_behaviors")
@@ -344,13 +345,14 @@ cte("o_fct_incident_behaviors", f"""
 SELECT {K('b.k_student', 'b.k_discipline_incident', 'lower(b.behavior_type)')} AS k_student_discipline_incident_behavior,
        b.k_student, b.k_student_xyear, b.k_discipline_incident, b.k_school, b.tenant_code, b.school_year,
        b.incident_id, b.school_id, b.behavior_type, x.severity_order,
-       row_number() OVER (PARTITION BY b.k_student, b.k_discipline_incident
-                          ORDER BY x.severity_order ASC NULLS LAST, b.behavior_type ASC NULLS LAST) = 1
+       CASE WHEN x.severity_order IS NOT NULL THEN
+         row_number() OVER (PARTITION BY b.k_student, b.k_student_xyear, b.k_school, b.k_discipline_incident
+                            ORDER BY x.severity_order DESC NULLS LAST, b.behavior_type ASC NULLS LAST) = 1 END
          AS is_most_severe_behavior
 FROM stg_student_behaviors b
 JOIN o_dim_student s ON b.k_student = s.k_student
 JOIN o_dim_discipline_incident i ON b.k_discipline_incident = i.k_discipline_incident
-LEFT JOIN (VALUES ('Major', 1), ('Moderate', 2), ('Minor', 3)) x(behavior_type, severity_order)
+LEFT JOIN (VALUES ('Major', 3), ('Moderate', 2), ('Minor', 1)) x(behavior_type, severity_order)
   ON b.behavior_type = x.behavior_type""", "stg_student_behaviors", "o_dim_student", "o_dim_discipline_incident")
 
 cte("o_q3", """
@@ -514,7 +516,7 @@ JOIN o_dim_course_section c ON x.k_course_section = c.k_course_section""",
     "stg_student_sections", "o_dim_student", "o_dim_course_section")
 
 cte("staff_home", """
-SELECT *, 'T' || CAST(c_custkey AS VARCHAR) AS staff_unique_id FROM customer_home WHERE c_custkey % 47 = 0""",
+SELECT *, 'T' || CAST(c_custkey AS VARCHAR) AS staff_unique_id FROM customer_home""",
     "customer_home")
 
 cte("stg_staff_emails", f"""
@@ -568,7 +570,7 @@ FROM (SELECT s.tenant_code, 2024 AS school_year, {K('s.tenant_code', 's.staff_un
              CASE WHEN s.c_custkey % 5 = 0 THEN DATE '2024-01-20' END AS end_date,
              'Teacher of Record' AS classroom_position
       FROM staff_home s JOIN part_home p
-        ON s.home_school_id = p.home_school_id AND (s.c_custkey // 47) % 7 = p.p_partkey % 7) x
+        ON s.c_custkey = p.p_partkey % (SELECT count(*) FROM customer) AND p.p_size < 45) x
 JOIN o_dim_staff d ON x.k_staff = d.k_staff
 JOIN o_dim_course_section c ON x.k_course_section = c.k_course_section""",
     "staff_home", "part_home", "o_dim_staff", "o_dim_course_section")
@@ -805,8 +807,7 @@ SELECT a.k_student_academic_record, 'Regular Diploma' AS diploma_type,
        make_date(a.school_year, 6, 1) AS diploma_award_date, 'Diploma ' || a.academic_term AS diploma_description,
        r.tenant_code, r.k_student, r.k_student_xyear, r.k_lea, r.k_school, r.school_year, r.academic_term
 FROM stg_academic_records a
-JOIN o_fct_academic_record r ON a.k_student_academic_record = r.k_student_academic_record
-WHERE a.c_custkey % 6 = 0 AND (a.academic_term = 'Spring' OR a.c_custkey % 12 = 0)""",
+JOIN o_fct_academic_record r ON a.k_student_academic_record = r.k_student_academic_record""",
     "stg_academic_records", "o_fct_academic_record")
 
 cte("o_fct_diploma", """
@@ -925,7 +926,7 @@ JOIN o_dim_program p ON b.k_program = p.k_program""", "part_home", "o_dim_course
 
 # ---------------------------------------------------------------- educator preparation
 cte("candidate_home", """
-SELECT *, 'C' || CAST(c_custkey AS VARCHAR) AS candidate_id FROM customer_home WHERE c_custkey % 13 = 0""",
+SELECT *, 'C' || CAST(c_custkey AS VARCHAR) AS candidate_id FROM customer_home""",
     "customer_home")
 
 cte("stg_candidates", f"""
@@ -1008,7 +1009,7 @@ SELECT s.k_candidate, s.k_staff, s.tenant_code, s.api_year, s.begin_date, s.staf
 FROM (SELECT tenant_code, 2024 AS api_year, {K('tenant_code', 'candidate_id', '2024')} AS k_candidate,
              {K('tenant_code', "'T' || CAST(c_custkey AS VARCHAR)")} AS k_staff, DATE '2023-09-01' AS begin_date,
              'Mentor' AS staff_to_candidate_relationship
-      FROM candidate_home WHERE c_custkey % 47 = 0) s
+      FROM candidate_home) s
 JOIN o_dim_candidate c ON s.k_candidate = c.k_candidate
 JOIN o_dim_staff st ON s.k_staff = st.k_staff""", "candidate_home", "o_dim_candidate", "o_dim_staff")
 
@@ -1096,14 +1097,13 @@ JOIN o_dim_local_account a ON s.k_local_account = a.k_local_account""", "orders_
 # ---------------------------------------------------------------- section attendance events
 cte("stg_section_events", f"""
 SELECT hu.tenant_code, 2024 AS school_year, {K('hu.tenant_code', 'e.user_id', '2024')} AS k_student,
-       {K('hp.tenant_code', 'e.event_id % 200', "'S1'")} AS k_course_section,
+       {K('hp.tenant_code', 'e.event_id % (SELECT count(*) FROM part)', "'S1'")} AS k_course_section,
        CAST(e.ts AS DATE) AS attendance_event_date,
        CASE WHEN e.event_type = 'view' THEN 'Tardy' ELSE e.event_type END AS attendance_event_category,
        CAST(e.event_id AS VARCHAR) AS attendance_event_reason
 FROM events e
 JOIN home_school hu ON e.user_id % (SELECT count(*) FROM supplier) = hu.home_school_id
-JOIN home_school hp ON (e.event_id % 200) % (SELECT count(*) FROM supplier) = hp.home_school_id
-WHERE e.event_type IN ('click', 'view')""", "home_school")
+JOIN home_school hp ON (e.event_id % (SELECT count(*) FROM part)) % (SELECT count(*) FROM supplier) = hp.home_school_id""", "home_school")
 
 cte("o_fct_section_events", """
 SELECT e.k_student, s.k_student_xyear, e.k_course_section, c.k_school, e.tenant_code, e.school_year,
@@ -1388,7 +1388,7 @@ SELECT s.* FROM (
          {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
          CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
          o_orderpriority AS program_name, 'Yes' AS direct_certification
-  FROM orders_home WHERE o_orderkey % 5 = 0) s
+  FROM orders_home WHERE o_orderstatus = 'F') s
 JOIN o_dim_student d ON s.k_student = d.k_student
 JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
 cte("o_fct_migrant_education_program", f"""
@@ -1399,7 +1399,7 @@ SELECT s.* FROM (
          {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
          CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
          o_orderpriority AS program_name, o_orderkey % 2 = 0 AS priority_for_service
-  FROM orders_home WHERE o_orderkey % 7 = 0) s
+  FROM orders_home WHERE o_orderstatus = 'P') s
 JOIN o_dim_student d ON s.k_student = d.k_student
 JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
 
@@ -1454,14 +1454,14 @@ FROM (SELECT tenant_code, {K('tenant_code', 'user_id + 7', '2024')} AS k_student
              {K('tenant_code', 'home_school_id', 'event_id')} AS k_discipline_incident,
              {K('tenant_code', 'home_school_id')} AS k_school, CAST(home_school_id AS VARCHAR) AS school_id,
              CAST(event_id AS VARCHAR) AS incident_id, event_id
-      FROM error_events WHERE event_id % 3 = 0) s
+      FROM error_events) s
 JOIN (SELECT k_student, k_discipline_incident, list_sort(list(code)) AS codes FROM (
         SELECT {K('tenant_code', 'user_id + 7', '2024')} AS k_student,
                {K('tenant_code', 'home_school_id', 'event_id')} AS k_discipline_incident, 'Witness' AS code
-        FROM error_events WHERE event_id % 3 = 0
+        FROM error_events
         UNION ALL
         SELECT {K('tenant_code', 'user_id + 7', '2024')}, {K('tenant_code', 'home_school_id', 'event_id')}, 'Reporter'
-        FROM error_events WHERE event_id % 3 = 0 AND event_id % 2 = 0) u
+        FROM error_events WHERE event_id % 2 = 0) u
       GROUP BY 1, 2) c ON s.k_student = c.k_student AND s.k_discipline_incident = c.k_discipline_incident
 JOIN o_dim_student d ON s.k_student = d.k_student
 JOIN o_dim_school sc ON s.k_school = sc.k_school

@@ -84,13 +84,14 @@ def fct_student_discipline_actions(wh) -> DataFrame:
     j = j.withColumn("discipline_action", descriptor_short(F.col("__d.disciplineDescriptor"))).drop("__d")
     xw = seed(wh("xwalk_discipline_actions"))
     j = j.join(xw, "discipline_action", "left")
-    j = flag_first(j, "is_most_severe", ["k_student", "k_discipline_actions_event"],
-                   [F.col("severity_order").asc_nulls_last(), F.col("discipline_action").asc_nulls_last()])
+    j = flag_first(j, "is_most_severe_action", ["k_student", "k_student_xyear", "k_school", "k_discipline_actions_event"],
+                   [F.col("severity_order").desc_nulls_last(), F.col("discipline_action").asc_nulls_last()])
+    j = j.withColumn("is_most_severe_action", F.when(F.col("severity_order").isNotNull(), F.col("is_most_severe_action")))
     return j.select("k_student", "k_student_xyear", "k_school", "k_school__assignment", "k_school__responsibility",
                     "school_year", "k_discipline_actions_event", "k_staff", "tenant_code", "discipline_action_id",
                     "discipline_date", "discipline_action", "discipline_action_length", "k_staff_array",
                     "k_student_discipline_incident_behavior_array", "severity_order", "is_oss", "is_iss", "is_exp",
-                    "is_minor", "is_most_severe")
+                    "is_minor", "is_most_severe_action")
 
 
 @dataset("fct_student_discipline_incident_behaviors", domain="discipline",
@@ -103,8 +104,9 @@ def fct_student_discipline_incident_behaviors(wh) -> DataFrame:
     inc = wh("dim_discipline_incident").select("k_discipline_incident")
     xw = seed(wh("xwalk_discipline_behaviors"))
     j = b.join(stu, "k_student").join(inc, "k_discipline_incident").join(xw, "behavior_type", "left")
-    j = flag_first(j, "is_most_severe_behavior", ["k_student", "k_discipline_incident"],
-                   [F.col("severity_order").asc_nulls_last(), F.col("behavior_type").asc_nulls_last()])
+    j = flag_first(j, "is_most_severe_behavior", ["k_student", "k_student_xyear", "k_school", "k_discipline_incident"],
+                   [F.col("severity_order").desc_nulls_last(), F.col("behavior_type").asc_nulls_last()])
+    j = j.withColumn("is_most_severe_behavior", F.when(F.col("severity_order").isNotNull(), F.col("is_most_severe_behavior")))
     return j.select(surrogate_key("k_student", "k_discipline_incident", F.lower("behavior_type"))
                     .alias("k_student_discipline_incident_behavior"),
                     "k_student", "k_student_xyear", "k_discipline_incident", "k_school", "tenant_code",

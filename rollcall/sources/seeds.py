@@ -81,17 +81,17 @@ STUDENT_PROGRAMS = [
     ("3-MEDIUM", "medium_support", False, True, True),
 ]
 
-# fixed values: discipline behaviors -> severity order (1 is most severe)
+# fixed values: discipline behaviors -> severity order (the highest is most severe)
 DISCIPLINE_BEHAVIORS = [
-    ("Major", 1),
+    ("Major", 3),
     ("Moderate", 2),
-    ("Minor", 3),
+    ("Minor", 1),
 ]
 
 # fixed values: discipline actions -> severity and suspension/expulsion flags
 DISCIPLINE_ACTIONS = [
-    ("Suspension", 1, True, False, False, False),
-    ("Detention", 2, False, True, False, False),
+    ("Suspension", 2, True, False, False, False),
+    ("Detention", 1, False, True, False, False),
 ]
 
 # fixed values: assessment score crosswalk (NULL identifier / family match any)

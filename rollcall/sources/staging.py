@@ -12,7 +12,7 @@ tenant / LEA                    region, nation (tenant = region name)
 school                          supplier (tenant from the supplier's nation)
 calendars, dates, events,       one or two calendars per school, every day of
 sessions                        January 2024, three sessions per school
-student (per year)              customer; home school = supplier c_custkey % 10
+student (per year)              customer; home school = supplier c_custkey % number of suppliers
 enrollment                      customer (entry/exit/withdraw rules on the key)
 attendance event                events (student = user_id, day = date(ts))
 grades                          lineitem (student = order's customer)
@@ -62,8 +62,8 @@ GRADING_PERIODS = [
 ASSESSMENT_NAMESPACE = "uri://rollcall.example/assessment"
 SCORE_NAMES = ["Scale Score", "Raw Score", "Percentile"]
 PERFORMANCE_LEVELS = [("Proficient", "3"), ("Approaching", "2"), ("Below", "1")]
-# fixed values: staff are customers whose key is a multiple of this
-STAFF_KEY_STEP = 47
+# fixed value: sections of parts of this size or more have no teacher yet
+VACANT_FROM_SIZE = 45
 # fixed values: class periods (name, start, end) with 12-hour clock entries as sent by sources
 CLASS_PERIODS = [
     ("Period 1", "08:00:00", "08:50:00"),
@@ -73,8 +73,6 @@ CLASS_PERIODS = [
 ]
 # fixed values: descriptor URI prefix of course level characteristics
 CHAR_URI = "uri://rollcall.example/CourseLevelCharacteristicDescriptor#"
-# fixed values: candidates are customers whose key is a multiple of this
-CANDIDATE_KEY_STEP = 13
 # fixed values: certification exams
 CERT_EXAMS = ["Praxis Core", "Praxis Subject"]
 # fixed values: chart-of-account dimensions (name, part column, modulus)
@@ -93,8 +91,8 @@ PROGRAM_STAGES = {
     "special_education": ("o_orderpriority = '3-MEDIUM'", "special_education_setting", "'Inside regular class'"),
     "title_i_part_a": ("o_orderpriority = '4-NOT SPECIFIED'", "title_i_part_a_participant_status", "'Targeted'"),
     "cte": ("o_orderpriority = '5-LOW'", "technical_skills_assessment", "'Passed'"),
-    "school_food_service": ("o_orderkey % 5 = 0", "direct_certification", "'Yes'"),
-    "migrant_education": ("o_orderkey % 7 = 0", "priority_for_service", "o_orderkey % 2 = 0"),
+    "school_food_service": ("o_orderstatus = 'F'", "direct_certification", "'Yes'"),
+    "migrant_education": ("o_orderstatus = 'P'", "priority_for_service", "o_orderkey % 2 = 0"),
 }
 # fixed values: races by c_custkey % 5 (index 4 = no race rows)
 RACES_BY_KEY = [["White"], ["Black - African American"], ["White", "Asian"], ["Asian"], []]
@@ -175,6 +173,16 @@ class Staging:
         """Number of schools; keys modulo this number name a school."""
         return self.t("supplier").count()
 
+    @cached_property
+    def n_staff(self) -> int:
+        """Number of staff (customers); keys modulo this number name one."""
+        return max(1, self.t("customer").count())
+
+    @cached_property
+    def n_sections(self) -> int:
+        """Number of sections (parts); keys modulo this number name one."""
+        return max(1, self.t("part").count())
+
     def _home_school(self) -> DataFrame:
         """Every school, with its tenant: students are assigned to all of them."""
         nt = self("nation_tenant").select(F.col("n_nationkey").alias("s_nationkey"), "tenant_code")
@@ -560,7 +568,7 @@ class Staging:
                         key("tenant_code", "home_school_id").alias("k_school"))
 
     def _stg_ef3__discipline_actions(self) -> DataFrame:
-        e = self("error_events").filter(_mod("event_id", 2) == 0)
+        e = self("error_events")
         school = key("tenant_code", "home_school_id")
         uri = "uri://rollcall.example/DisciplineDescriptor#"
         one = F.concat(F.lit('[{"disciplineDescriptor": "' + uri),
@@ -675,9 +683,9 @@ class Staging:
             F.when(F.col("l_linestatus") == "F", F.date_add(begin, 15)).alias("end_date"),
             (F.col("l_linenumber") == 1).alias("is_homeroom"))
 
-    # ---- staff (customers whose key is a multiple of STAFF_KEY_STEP) ----------
+    # ---- staff (customers) ------------------------------------------------------
     def _staff_home(self) -> DataFrame:
-        c = self("customer_home").filter(_mod("c_custkey", STAFF_KEY_STEP) == 0)
+        c = self("customer_home")
         return c.withColumn("staff_unique_id", F.concat(F.lit("T"), F.col("c_custkey").cast("string")))
 
     def _stg_ef3__staffs(self) -> DataFrame:
@@ -705,11 +713,11 @@ class Staging:
                         F.col("m.t").alias("email_type"), F.col("m.e").alias("email_address"))
 
     def _stg_ef3__staff_section_associations(self) -> DataFrame:
-        st = self("staff_home").select("tenant_code", "staff_unique_id", "home_school_id", "c_custkey")
-        p = self("part_home").select("p_partkey", F.col("home_school_id").alias("p_school"),
-                                     F.col("tenant_code").alias("p_tenant"))
-        j = st.join(p, (st.home_school_id == p.p_school)
-                    & (F.pmod(F.floor(F.col("c_custkey") / STAFF_KEY_STEP), F.lit(7)) == F.pmod("p_partkey", F.lit(7))))
+        # one teacher for each section that is not vacant
+        st = self("staff_home").select("tenant_code", "staff_unique_id", "c_custkey")
+        p = self("part_home").filter(F.col("p_size") < VACANT_FROM_SIZE).select(
+            "p_partkey", _mod("p_partkey", self.n_staff).alias("c_custkey"), F.col("tenant_code").alias("p_tenant"))
+        j = st.join(p, "c_custkey")
         return j.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
                         key("tenant_code", "staff_unique_id").alias("k_staff"),
                         key("p_tenant", "p_partkey", F.lit("S1")).alias("k_course_section"),
@@ -870,8 +878,7 @@ class Staging:
             F.lit(True).alias("is_cumulative"), F.lit(4.5).alias("max_gpa_value"))
 
     def _stg_ef3__student_academic_records__diplomas(self) -> DataFrame:
-        a = self("academic_home").filter(
-            (_mod("c_custkey", 6) == 0) & ((F.col("academic_term") == "Spring") | (_mod("c_custkey", 12) == 0)))
+        a = self("academic_home")
         return a.select(
             "tenant_code",
             key("tenant_code", "c_custkey", "school_year", "academic_term").alias("k_student_academic_record"),
@@ -958,7 +965,7 @@ class Staging:
 
     # ---- educator preparation (customers) -----------------------------------------
     def _candidate_home(self) -> DataFrame:
-        c = self("customer_home").filter(_mod("c_custkey", CANDIDATE_KEY_STEP) == 0)
+        c = self("customer_home")
         return c.withColumn("candidate_id", F.concat(F.lit("C"), F.col("c_custkey").cast("string")))
 
     def _stg_tpdm__candidates(self) -> DataFrame:
@@ -1031,7 +1038,7 @@ class Staging:
                         score.cast("string").alias("certification_exam_score"))
 
     def _stg_tpdm__candidate_relationship_to_staff_associations(self) -> DataFrame:
-        c = self("candidate_home").filter(_mod("c_custkey", STAFF_KEY_STEP) == 0)
+        c = self("candidate_home")
         return c.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
                         key("tenant_code", "candidate_id", F.lit(SCHOOL_YEAR)).alias("k_candidate"),
                         key("tenant_code", F.concat(F.lit("T"), F.col("c_custkey").cast("string"))).alias("k_staff"),
@@ -1067,15 +1074,15 @@ class Staging:
     # ---- section attendance events (events) ---------------------------------------
     def _stg_ef3__student_section_attendance_events(self) -> DataFrame:
         ev = (self.t("events").select("event_id", "ts", "user_id", "event_type")
-              .filter(F.col("event_type").isin("click", "view")))
+              .withColumn("p_partkey", _mod("event_id", self.n_sections)))
         hs = self("home_school")
         j = (ev.join(hs.select(F.col("home_school_id").alias("u_school"), "tenant_code"),
                      _mod("user_id", self.n_home_schools) == F.col("u_school"))
              .join(hs.select(F.col("home_school_id").alias("p_school"), F.col("tenant_code").alias("p_tenant")),
-                   _mod(_mod("event_id", 200), self.n_home_schools) == F.col("p_school")))
+                   _mod("p_partkey", self.n_home_schools) == F.col("p_school")))
         return j.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
                         key("tenant_code", "user_id", F.lit(SCHOOL_YEAR)).alias("k_student"),
-                        key("p_tenant", _mod("event_id", 200), F.lit("S1")).alias("k_course_section"),
+                        key("p_tenant", "p_partkey", F.lit("S1")).alias("k_course_section"),
                         F.to_date("ts").alias("attendance_event_date"),
                         F.when(F.col("event_type") == "view", "Tardy").otherwise(F.col("event_type"))
                         .alias("attendance_event_category"),
@@ -1310,8 +1317,7 @@ class Staging:
                         F.substring_index(F.col("d.disciplineDescriptor"), "#", -1).alias("discipline_type"))
 
     def _non_offenders(self) -> DataFrame:
-        return self("error_events").filter(_mod("event_id", 3) == 0).withColumn(
-            "witness", F.col("user_id") + 7)
+        return self("error_events").withColumn("witness", F.col("user_id") + 7)
 
     def _stg_ef3__student_discipline_incident_non_offender_associations(self) -> DataFrame:
         e = self("non_offenders")
