@@ -13,7 +13,9 @@ little to be called repeats and stay.
   words, so only these are joined.  Positional filter: where two lines first
   meet, the words either has left must still reach the overlap, and so must
   the words that their prefixes share with all that may follow.  Length
-  filter: so must the lengths.
+  filter: so must the lengths.  Parity filter: each of 64 bits in which the
+  parities of two lines differ takes a word that only one of them has, so
+  where too many differ the pair is dropped as it meets.
 Lines that repeat as they are, however often, are one class and meet no one;
 blocks are joined with both sides dealt by the word, so a common word's block
 can be split.  Words are compared by 63-bit hashes.
@@ -34,18 +36,25 @@ PERCENT, MIN_WORDS = 80, 5
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 RANKS = 1 << 10
-SPACE = r"[\x20\x09-\x0D]+"
+#: white space within a line, besides the blank
+OTHER_SPACE = "\t\x0b\f\r"
 
 
-def line_texts(text: Column) -> Column:
-    return F.split(ascii_lower(F.coalesce(text, F.lit(""))), "\n")
+def text_lines(docs: DataFrame, *keep: str) -> DataFrame:
+    """Columns ``keep`` and, for each line of ``text``, its number ``line`` and
+    words ``t``, lower-cased with blanks for other white space.  A line is
+    lower-cased by itself, as most have ASCII only."""
+    text = F.coalesce("text", F.lit(""))
+    blanks = F.when(text.rlike(r"[\x09\x0B-\x0D]"), F.translate(text, OTHER_SPACE, " " * len(OTHER_SPACE))).otherwise(text)
+    return (docs.select(*keep, blanks.alias("text")).select(*keep, F.posexplode(F.split("text", "\n")).alias("line", "t"))
+            .withColumn("t", ascii_lower(F.col("t"))))
 
 
 def rarity_ranks(docs: DataFrame) -> Column:
     """Rank (up to ``RANKS``) of each bucket by the words in it over all texts:
     ``BUCKETS`` small numbers at any size, passed on as a constant."""
     bucket = F.shiftrightunsigned(F.xxhash64("w"), 64 - BUCKET_BITS).cast("int").alias("bucket")
-    totals = (docs.select(F.explode(F.split(ascii_lower(F.col("text")), SPACE)).alias("w")).where("w != ''")
+    totals = (text_lines(docs).select(F.explode(F.split("t", " ")).alias("w")).where("w != ''")
               .groupBy(bucket).agg(F.count("*").alias("n")).toArrow())
     found = dict(zip(totals.column("bucket").to_pylist(), totals.column("n").to_pylist(), strict=True))
     ranks = [0] * BUCKETS
@@ -60,16 +69,24 @@ def ordered_words(line: Column, ranks: Column) -> Column:
     rank_bits = RANKS.bit_length() - 1
     low = (1 << (63 - rank_bits)) - 1
 
-    def number(w: Column) -> Column:
-        h = F.xxhash64(w)
+    def number(h: Column) -> Column:
         rank = F.element_at(ranks, F.shiftrightunsigned(h, 64 - BUCKET_BITS).cast("int") + 1).cast("long")
         return F.shiftleft(rank, 63 - rank_bits).bitwiseOR(h.bitwiseAND(F.lit(low)))
 
-    return F.sort_array(F.array_distinct(F.transform(F.array_remove(F.split(line, SPACE), ""), number)))
+    hashes = F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w)))
+    return F.sort_array(F.transform(hashes, number))
+
+
+def _parities(words: Column) -> Column:
+    """64 bits: is the number of words that fall on each of them odd?"""
+    def turn(bits: Column, w: Column) -> Column:
+        return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int")))
+
+    return F.aggregate(words, F.lit(0).cast("long"), turn)
 
 
 def _signature(words: Column) -> Column:
-    return F.struct(F.xxhash64(words).alias("s1"), F.hash(words).alias("s2"), F.size(words).alias("n"))
+    return F.struct(F.xxhash64(words).alias("s1"), _parities(words).alias("bits"), F.size(words).alias("n"))
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
@@ -79,8 +96,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
     ranks = rarity_ranks(src)
     prefix = F.slice("words", 1, (F.size("words") - F.ceil(F.size("words") * percent / 100) + 1).cast("int"))
     lines = written(
-        src.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-        .select("doc_id", "row", F.posexplode(line_texts(F.col("text"))).alias("line", "t"))
+        text_lines(src.withColumn("row", F.monotonically_increasing_id()), "doc_id", "row")
         .select("doc_id", "row", "line", ordered_words(F.col("t"), ranks).alias("words"))
         .select("doc_id", "row", "line", F.when(F.size("words") >= min_words, _signature(F.col("words"))).alias("sig"),
                 F.when(F.size("words") >= min_words, prefix).alias("prefix")), "lines")
@@ -90,12 +106,14 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
                       .agg(F.min(place).alias("first"), F.count("*").alias("k"), F.min_by("prefix", place).alias("prefix"))
                       .withColumn("c", F.monotonically_increasing_id()), "line-classes")
     info = classes.select("c", "sig", "first", F.element_at("prefix", -1).alias("end"), F.size("prefix").alias("p"))
-    posts = classes.select("c", F.col("sig.n").alias("n"), F.posexplode("prefix").alias("pos", "col"))
+    posts = classes.select("c", F.col("sig.n").alias("n"), F.col("sig.bits").alias("bits"), F.posexplode("prefix").alias("pos", "col"))
 
     def possible(met: DataFrame) -> DataFrame:
         """Pairs (later a, earlier b) that the filters leave.  ``met``: one row
         for each word of both prefixes that two classes share."""
-        pairs = (met.where((F.col("a") > F.col("b")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
+        differ = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b")))
+        pairs = (met.where((F.col("a") > F.col("b")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+                           & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)))
                  .groupBy("a", "b").agg(F.count("*").alias("common"), F.min("na").alias("na"), F.min("nb").alias("nb"),
                                         F.min("pa").alias("pa"), F.min("pb").alias("pb"))
                  .where(F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent))
@@ -108,15 +126,15 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
         later = F.col("fa") > F.col("fb")
         return kept.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(later, F.col("b")).otherwise(F.col("a")).alias("b"))
 
-    one = posts.select("col", F.col("c").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
-    two = posts.select("col", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    one = posts.select("col", F.col("c").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("bits").alias("bits_a"))
+    two = posts.select("col", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("bits").alias("bits_b"))
+
     def sets_of(pairs: DataFrame) -> DataFrame:
         """Words of the classes in the pairs, read again from their first lines."""
         wanted = (pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct().join(info, "c")
                   .select("c", "sig", F.col("first.doc_id").alias("id"), F.col("first.line").alias("line")))
         ids = wanted.select("id").distinct()
-        again = (src.join(ids, src["doc_id"].eqNullSafe(ids["id"]), "left_semi")
-                 .select("doc_id", F.posexplode(line_texts(F.col("text"))).alias("line", "t"))).alias("l")
+        again = text_lines(src.join(ids, src["doc_id"].eqNullSafe(ids["id"]), "left_semi"), "doc_id").alias("l")
         found = written(again.join(wanted.alias("w"), F.col("l.doc_id").eqNullSafe(F.col("w.id")) & (F.col("l.line") == F.col("w.line")))
                         .select("c", "sig", ordered_words(F.col("t"), ranks).alias("words")), "line-words")
         # rows may share a doc_id, so a line found by it must be the right one
