@@ -15,7 +15,8 @@ little to be called repeats and stay.
   the words that their prefixes share with all that may follow.  Length
   filter: so must the lengths.  Parity filter: each of 64 bits in which the
   parities of two lines differ takes a word that only one of them has, so
-  where too many differ the pair is dropped as it meets.
+  where too many differ the pair is dropped as it meets.  From ``LONG`` words
+  on there are 128 bits.
 Lines that repeat as they are, however often, are one class and meet no one;
 blocks are joined with both sides dealt by the word, so a common word's block
 can be split.  Words are compared by 63-bit hashes.
@@ -36,6 +37,7 @@ PERCENT, MIN_WORDS = 80, 5
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 RANKS = 1 << 10
+LONG = 64
 #: white space within a line, besides the blank
 OTHER_SPACE = "\t\x0b\f\r"
 
@@ -85,8 +87,14 @@ def _parities(words: Column) -> Column:
     return F.aggregate(words, F.lit(0).cast("long"), turn)
 
 
+def _half(words: Column) -> Column:
+    """The same of about half of the words, for long lines, in which 64 bits
+    say too little: it and its difference from the whole make 128."""
+    return F.when(F.size(words) >= LONG, _parities(F.filter(words, lambda w: w.bitwiseAND(F.lit(64)) != 0))).otherwise(0)
+
+
 def _signature(words: Column) -> Column:
-    return F.struct(F.xxhash64(words).alias("s1"), _parities(words).alias("bits"), F.size(words).alias("n"))
+    return F.struct(F.xxhash64(words).alias("s1"), _parities(words).alias("bits"), _half(words).alias("half"), F.size(words).alias("n"))
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
@@ -106,14 +114,19 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
                       .agg(F.min(place).alias("first"), F.count("*").alias("k"), F.min_by("prefix", place).alias("prefix"))
                       .withColumn("c", F.monotonically_increasing_id()), "line-classes")
     info = classes.select("c", "sig", "first", F.element_at("prefix", -1).alias("end"), F.size("prefix").alias("p"))
-    posts = classes.select("c", F.col("sig.n").alias("n"), F.col("sig.bits").alias("bits"), F.posexplode("prefix").alias("pos", "col"))
+    posts = classes.select("c", F.col("sig.n").alias("n"), F.col("sig.bits").alias("bits"), F.col("sig.half").alias("half"), F.posexplode("prefix").alias("pos", "col"))
 
     def possible(met: DataFrame) -> DataFrame:
         """Pairs (later a, earlier b) that the filters leave.  ``met``: one row
         for each word of both prefixes that two classes share."""
-        differ = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b")))
+        whole, half = (F.col(f"{x}_a").bitwiseXOR(F.col(f"{x}_b")) for x in ("bits", "half"))
+        differ = (F.when(F.least("na", "nb") >= LONG, F.bit_count(whole.bitwiseXOR(half)) + F.bit_count(half))
+                  .otherwise(F.bit_count(whole)))
+        # what two lines can share up to a word that both have, and from it on
+        most = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
         pairs = (met.where((F.col("a") > F.col("b")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-                           & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)))
+                           & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
+                           & (most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent))
                  .groupBy("a", "b").agg(F.count("*").alias("common"), F.min("na").alias("na"), F.min("nb").alias("nb"),
                                         F.min("pa").alias("pa"), F.min("pb").alias("pb"))
                  .where(F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent))
@@ -126,8 +139,10 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
         later = F.col("fa") > F.col("fb")
         return kept.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(later, F.col("b")).otherwise(F.col("a")).alias("b"))
 
-    one = posts.select("col", F.col("c").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("bits").alias("bits_a"))
-    two = posts.select("col", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("bits").alias("bits_b"))
+    one = posts.select("col", F.col("c").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("bits").alias("bits_a"),
+                       F.col("half").alias("half_a"))
+    two = posts.select("col", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("bits").alias("bits_b"),
+                       F.col("half").alias("half_b"))
 
     def sets_of(pairs: DataFrame) -> DataFrame:
         """Words of the classes in the pairs, read again from their first lines."""
