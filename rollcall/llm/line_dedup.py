@@ -114,7 +114,8 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
                       .agg(F.min(place).alias("first"), F.count("*").alias("k"), F.min_by("prefix", place).alias("prefix"))
                       .withColumn("c", F.monotonically_increasing_id()), "line-classes")
     info = classes.select("c", "sig", "first", F.element_at("prefix", -1).alias("end"), F.size("prefix").alias("p"))
-    posts = classes.select("c", F.col("sig.n").alias("n"), F.col("sig.bits").alias("bits"), F.col("sig.half").alias("half"), F.posexplode("prefix").alias("pos", "col"))
+    posts = classes.select("c", F.col("sig.n").alias("n"), F.col("sig.bits").alias("bits"), F.col("sig.half").alias("half"),
+                           F.posexplode("prefix").alias("pos", "col"))
 
     def possible(met: DataFrame) -> DataFrame:
         """Pairs (later a, earlier b) that the filters leave.  ``met``: one row
@@ -148,9 +149,8 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
         """Words of the classes in the pairs, read again from their first lines."""
         wanted = (pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct().join(info, "c")
                   .select("c", "sig", F.col("first.doc_id").alias("id"), F.col("first.line").alias("line")))
-        ids = wanted.select("id").distinct()
-        again = text_lines(src.join(ids, src["doc_id"].eqNullSafe(ids["id"]), "left_semi"), "doc_id").alias("l")
-        found = written(again.join(wanted.alias("w"), F.col("l.doc_id").eqNullSafe(F.col("w.id")) & (F.col("l.line") == F.col("w.line")))
+        found = written(text_lines(src, "doc_id").alias("l")
+                        .join(wanted.alias("w"), F.col("l.doc_id").eqNullSafe(F.col("w.id")) & (F.col("l.line") == F.col("w.line")))
                         .select("c", "sig", ordered_words(F.col("t"), ranks).alias("words")), "line-words")
         # rows may share a doc_id, so a line found by it must be the right one
         return found.where(_signature(F.col("words")) == F.col("sig")).select("c", "words").dropDuplicates(["c"])
