@@ -2,13 +2,15 @@
 
 A line is the set of its distinct words (A-Z lower-cased).  It goes if an
 earlier line of the corpus, by doc_id and line number, reaches ``PERCENT``
-Jaccard similarity.  Lines of fewer than ``MIN_WORDS`` distinct words say too
-little to be called repeats and stay.
+Jaccard similarity.  Lines of fewer than ``min_words`` distinct words are left
+out; ``op9`` sets it to 1, so every line that isn't blank takes part.
 
 * Words are put in one order for all lines, rare ones first.  Rarity is the
   total of the word's hash bucket over all lines; any common order gives the
   same result, and the table of ``BUCKETS`` ranks is of fixed size.
-* Lines with the same set are one class; its earliest line counts.
+* Lines with the same set are one class; its earliest line counts.  Sets so
+  small that one word more or less ends the similarity (1 to 3 words) can only
+  equal each other, so their classes meet no others.
 * Prefix filter: similar lines meet among their first ``n - ceil(t n) + 1``
   words, so only these are joined.  Positional filter: where two lines first
   meet, the words either has left must still reach the overlap, and so must
@@ -114,7 +116,8 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
                       .agg(F.min(place).alias("first"), F.count("*").alias("k"), F.min_by("prefix", place).alias("prefix"))
                       .withColumn("c", F.monotonically_increasing_id()), "line-classes")
     info = classes.select("c", "sig", "first", F.element_at("prefix", -1).alias("end"), F.size("prefix").alias("p"))
-    posts = classes.select("c", F.col("sig.n").alias("n"), F.col("sig.bits").alias("bits"), F.col("sig.half").alias("half"),
+    # one word more is the least that another set can differ by
+    posts = classes.where(F.col("sig.n") * 100 >= (F.col("sig.n") + 1) * percent).select("c", F.col("sig.n").alias("n"), F.col("sig.bits").alias("bits"), F.col("sig.half").alias("half"),
                            F.posexplode("prefix").alias("pos", "col"))
 
     def possible(met: DataFrame) -> DataFrame:

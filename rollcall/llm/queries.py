@@ -64,7 +64,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.removed_lines(read(spark, sf_dir, "documents")).withColumn(
+    return line_dedup.removed_lines(read(spark, sf_dir, "documents"), min_words=1).withColumn(
         "removed_lines", F.array_join("removed_lines", ","))
 
 
