@@ -1,6 +1,6 @@
 """Places where the training-data operators once did less than the whole job."""
 
-from rollcall.llm import line_dedup
+from rollcall.llm import fingerprints, line_dedup
 
 
 def test_short_lines_repeat(spark):
@@ -23,3 +23,11 @@ def test_op9_takes_lines_of_one_word(spark, tmp_path):
     from rollcall.llm.queries import op9_line_dedup
     spark.createDataFrame([(0, "menu\nx"), (1, "y\nmenu")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert {r.doc_id: r.removed_lines for r in op9_line_dedup(spark, str(tmp_path)).collect()} == {0: "", 1: "1"}
+
+
+def test_edited_texts_score_above_the_next(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = fingerprints.with_edited(docs).where("n_chars > 200").select("near_edited", "near_next").collect()
+    no_higher = sum(r.near_edited <= r.near_next for r in rows) / len(rows)
+    assert len(rows) > 900 and no_higher <= 0.002
+    assert all(r.near_edited > 0 for r in rows)
