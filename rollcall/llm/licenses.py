@@ -2,12 +2,15 @@
 
 One Aho-Corasick automaton holds all phrases and the identifier tag; it reads
 each whole text once, as lower-case words joined by single spaces.  Where the
-tag occurs, the expression after it is read from the text, turned to postfix
-order by a shunting-yard parser (``with`` binds tightest, then ``and``, then
-``or``) and evaluated against a set of accepted licences.
+tag occurs, the longest valid expression right after it on the line is read
+from the text, turned to postfix order by a shunting-yard parser (``with`` binds
+tightest, then ``and``, then ``or``) and evaluated against a set of accepted
+licences.  What follows on the line (the end of a comment, another sentence) is
+left out: a word that can't continue the expression, a dash or a closing dot
+ends it.
 
 Edge cases: null and empty texts give no words, no labels and score 0; a
-malformed expression yields no identifiers; repeated rows are scanned alike;
+tag without a valid expression yields no identifiers; repeated rows are scanned alike;
 overlapping and repeated phrases all count; other columns are ignored.
 """
 
@@ -53,10 +56,32 @@ for _b in range(128):
 _WORDS = bytes(_WORDS)
 
 _TAGGED = re.compile(rb"spdx-license-identifier:[ \t]*([A-Za-z0-9.+() \t-]*)", re.IGNORECASE)
-_TOKEN = re.compile(r"[()]|[a-z0-9.+-]+")
+_TOKEN = re.compile(r"[()]|[A-Za-z0-9.+-]+")
 _RANK = {"or": 1, "and": 2, "with": 3}
 
 
+def leading(text: str) -> str:
+    """The longest valid licence expression that ``text`` begins with, its
+    tokens lower-cased and joined by blanks; empty if there is none."""
+    read, valid, depth, want_operand = [], 0, 0, True
+    for m in _TOKEN.finditer(text):
+        whole = m[0].lower()
+        t = whole.rstrip(".-")
+        if not t.strip(".+-"):
+            break  # dots and dashes only
+        operand = t not in _RANK and t not in ("(", ")")
+        if want_operand != (operand or t == "(") or (t == ")" and not depth):
+            break
+        read.append(t)
+        depth += (t == "(") - (t == ")")
+        want_operand = t == "(" or t in _RANK
+        if not want_operand and not depth:
+            valid = len(read)
+        if t != whole:
+            break  # the end of a sentence or comment
+    return " ".join(read[:valid])
+
+
 def postfix(expression: str) -> list[str]:
     """Licence expression in postfix order; ``[]`` if it is malformed."""
     out, held, want_operand = [], [], True
@@ -143,7 +168,7 @@ def scan(text: bytes) -> dict:
             labels.add(MORE_PHRASES[phrase])
     if tags:
         for m in _TAGGED.finditer(text):
-            if p := postfix(m[1].decode()):
+            if p := postfix(leading(m[1].decode())):
                 exprs.append(p)
                 labels |= identifiers(p)
     places = n_base + notices + len(exprs)

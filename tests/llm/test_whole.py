@@ -1,6 +1,8 @@
 """Places where the training-data operators once did less than the whole job."""
 
-from rollcall.llm import fingerprints, line_dedup
+import pytest
+
+from rollcall.llm import fingerprints, licenses, line_dedup
 
 
 def test_short_lines_repeat(spark):
@@ -31,3 +33,28 @@ def test_edited_texts_score_above_the_next(spark):
     no_higher = sum(r.near_edited <= r.near_next for r in rows) / len(rows)
     assert len(rows) > 900 and no_higher <= 0.002
     assert all(r.near_edited > 0 for r in rows)
+
+
+@pytest.mark.parametrize("line,labels,accepted", [
+    ("<!-- SPDX-License-Identifier: MIT -->", "mit", True),
+    ("<!-- SPDX-License-Identifier: MIT-->", "mit", True),
+    ("// SPDX-License-Identifier: MIT Copyright 2020 X", "mit", True),
+    ("SPDX-License-Identifier: Apache-2.0. See LICENSE", "apache-2.0", True),
+    ("SPDX-License-Identifier: Apache-2.0. And see LICENSE", "apache-2.0", True),
+    ("/* SPDX-License-Identifier: (MIT OR GPL-2.0+) AND ISC */", "gpl-2.0+,isc,mit", True),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH x (see COPYING)", "gpl-2.0-only", False),
+    ("SPDX-License-Identifier: MIT AND GPL-3.0-only - all files", "gpl-3.0-only,mit", False),
+    ("SPDX-License-Identifier: MIT) (c) X", "mit", True),
+    ("SPDX-License-Identifier: MIT OR --", "mit", True),
+])
+def test_tags_within_a_line(line, labels, accepted):
+    found = licenses.scan(f"first\n{line}\nlast".encode())
+    assert (found["labels"], found["expressions"], found["accepted"]) == (labels, 1, accepted)
+    assert found["base_labels"] == "" and found["n_base"] == 0 and found["score"] == 0.5
+
+
+@pytest.mark.parametrize("line", ["SPDX-License-Identifier:", "SPDX-License-Identifier: -->", "SPDX-License-Identifier: (MIT OR ISC",
+                                  "SPDX-License-Identifier: OR MIT", "SPDX-License-Identifier: ()"])
+def test_tags_without_an_expression(line):
+    found = licenses.scan(line.encode())
+    assert (found["labels"], found["expressions"], found["accepted"]) == ("", 0, None)
