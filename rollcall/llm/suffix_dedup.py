@@ -1,23 +1,27 @@
-"""Repeated passages across documents by a sparse suffix array.
-
-Only suffixes at content-selected positions are kept: the positions of the
-smallest word k-mer hash in each window of ``WINDOW`` k-mers.  Two copies of a
-passage select the same positions in it, whatever stands around them.
-
-1. Each selected suffix is keyed by its first ``KEY`` words; keys that occur
-   once are gone.  A passage of ``MIN_WORDS`` words has a selected position
-   with ``KEY`` words of it to the right.
-2. The remaining suffixes get ``MIN_WORDS`` words of context to the right and
-   ``WINDOW`` to the left, are sorted (range-partitioned, so a passage that a
-   third of all documents share is spread over many tasks) and compared with
-   their nearest neighbours from other documents.  A second order, by left context
-   among equal keys, brings those together that share more to the left.
-3. A match is extended to both sides; if it has ``MIN_WORDS`` words in all, it
-   is a repeat in both documents.  Repeats that touch are joined, so passages
-   longer than the contexts come out whole.
-
-Words are runs of bytes other than ASCII white space, A-Z lower-cased, and are
-compared by 32-bit hashes in contexts of which at least ``MIN_WORDS`` agree.
+"""Repeated passages across documents by their windows at shared minimisers.
+
+Every position of a text starts a window of ``MIN_WORDS`` words; a repeat is a
+run of windows that some other row has too.  Which windows can be shared is
+found from few positions first: the positions of the smallest word k-mer hash
+in each run of ``WINDOW`` k-mers.  Two copies of a passage select the same
+positions in it, whatever stands around them.
+
+1. Each selected suffix is keyed by its first ``KEY`` words; keys that one row
+   alone has are gone.
+2. The first ``WINDOW`` k-mers of a window select one position in it, with
+   ``KEY`` words of the window to the right, so a window that two rows share
+   has a key that is left.  The windows whose key is left are hashed, and those
+   that follow each other at one position are one run.
+3. Where all runs of a key are equal, all their windows are repeats.  The runs
+   of other keys are taken apart: windows with equal key and hash are one group,
+   and one with two rows is a repeat in each of them.  Keys and groups are held
+   as their smallest and largest row and doc_id (partial aggregates, so a
+   passage that a third of all documents share is spread over many tasks); no
+   neighbours are chosen and none are left out.
+4. Windows that touch are joined, so longer passages come out whole.
+
+Words are runs of bytes other than ASCII white space, A-Z lower-cased; windows
+are compared by 128-bit hashes (of the key and of the whole).
 
 Edge cases: null, empty and short texts have no repeats; repeats within one
 row don't count; equal rows repeat each other; rows may share a doc_id or have
@@ -27,6 +31,7 @@ a null one; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark import TaskContext
@@ -34,13 +39,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER_BYTES, arrow_rows, text_bytes, written
-from .streams import following
 
 MIN_WORDS, K = 50, 5
 WINDOW = MIN_WORDS // 2
 KEY = MIN_WORDS - WINDOW + 1
-#: earlier neighbours in the sorted order that a suffix is compared with
-NEAREST = 4
 _SEEDS = np.random.default_rng(4).integers(1, 2**63, size=64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -55,8 +57,8 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def selected(h: np.ndarray) -> np.ndarray:
-    """Positions of the minimisers that have ``KEY`` words from there on."""
+def minimisers(h: np.ndarray) -> np.ndarray:
+    """For each run of ``WINDOW`` k-mers the position of the smallest one."""
     if len(h) < MIN_WORDS:
         return np.zeros(0, np.int64)
     n = len(h) - K + 1
@@ -64,7 +66,12 @@ def selected(h: np.ndarray) -> np.ndarray:
     for i in range(1, K):
         g += h[i:i + n] * _SEEDS[i]
     g = _mixed(g)
-    at = np.unique(sliding_window_view(g, WINDOW).argmin(axis=1) + np.arange(n - WINDOW + 1))
+    return sliding_window_view(g, WINDOW).argmin(axis=1) + np.arange(n - WINDOW + 1)
+
+
+def selected(h: np.ndarray) -> np.ndarray:
+    """Positions of the minimisers that have ``KEY`` words from there on."""
+    at = np.unique(minimisers(h))
     return at[at + KEY <= len(h)]
 
 
@@ -73,37 +80,26 @@ def keys(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return _mixed((h[at[:, None] + np.arange(KEY)] * _SEEDS[K:K + KEY]).sum(axis=1, dtype=np.uint64)).view(np.int64)
 
 
-def _common(a: bytes, b: bytes) -> int:
-    """Leading 4-byte words that two contexts share."""
-    if a == b:
-        return len(a) // 4
-    lo, hi = 0, min(len(a), len(b)) // 4
-    while lo < hi:
-        mid = (lo + hi + 1) // 2
-        if a[:4 * mid] == b[:4 * mid]:
-            lo = mid
-        else:
-            hi = mid - 1
-    return lo
-
-
-def _match(x: list, y: list) -> list[tuple]:
-    """Spans (doc, row, lo, hi, other) of two suffixes (doc, row, pos, right,
-    left, to the left, to the right) that are a repeat, where they add to what
-    the last two say is known of a suffix."""
-    left, right = _common(x[4], y[4]), _common(x[3], y[3])
-    out = []
-    if left + right >= MIN_WORDS:
-        for a, b in ((x, y), (y, x)):
-            if left > a[5] or right > a[6]:
-                out.append((a[0], a[1], a[2] - left, a[2] + right, b[0]))
-                a[5], a[6] = max(a[5], left), max(a[6], right)
-    return out
+def windows(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of the windows of ``MIN_WORDS`` words whose minimiser is one of
+    ``at``, their minimisers and a hash of each."""
+    low = minimisers(h)[:max(0, len(h) - MIN_WORDS + 1)]
+    start = np.flatnonzero(np.isin(low, at))
+    if not len(start):
+        return start, start, start.astype(np.uint64)
+    # sums over the first and the last words of a window, which meet or overlap in its middle
+    size, seeds = MIN_WORDS - WINDOW, _SEEDS[K + KEY:]
+    n = len(h) - size + 1
+    part = h[:n] * seeds[0]
+    for i in range(1, size):
+        part += h[i:i + n] * seeds[i]
+    u, v = part[start], _mixed(part[start + WINDOW])
+    return start, low[start], _mixed(_mixed(u * seeds[size]) + v * seeds[size + 1])
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row per repeated passage: ``doc_id, row, first_word, end_word,
-    n_words, match_doc_id`` (one of the documents that share part of it)."""
+    n_words, match_doc_id`` (the smallest of the documents that share part of it)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     src = docs.select("doc_id", "text")
 
@@ -128,107 +124,71 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     places = (suffixes.join(again, "key", "left_semi").groupBy(F.col("doc_id").alias("id"), "row")
               .agg(F.sort_array(F.collect_list(F.struct("pos", "key"))).alias("at")))
 
-    def contexts(batches):
+    def hashed(batches):
         for b in batches:
-            out: dict[str, list] = {n: [] for n in ("doc_id", "row", "pos", "key", "right", "left")}
-            for doc, row, at, t in zip(b.column("doc_id").to_pylist(), b.column("row").to_pylist(), b.column("at").to_pylist(),
-                                       text_bytes(b), strict=True):
+            of, starts, sizes, names, hashes = [], [], [], [], []
+            for i, (at, t) in enumerate(zip(b.column("at").to_pylist(), text_bytes(b), strict=True)):
                 h = word_hashes(t)
                 at = [x for x in at if x["pos"] + KEY <= len(h)]
-                pos = np.array([x["pos"] for x in at], dtype=np.int64)
+                pos, key = (np.array([x[n] for x in at], dtype=np.int64) for n in ("pos", "key"))
                 # rows may share a doc_id; only the text that was sampled has these keys there
-                right_text = keys(h, pos) == np.array([x["key"] for x in at], dtype=np.int64) if at else []
-                small = h.astype(np.uint32)
-                back = small[::-1]
-                for p, x, ok in zip(pos.tolist(), at, right_text, strict=True):
-                    if ok:
-                        out["doc_id"].append(doc)
-                        out["row"].append(row)
-                        out["pos"].append(p)
-                        out["key"].append(x["key"])
-                        out["right"].append(small[p:p + MIN_WORDS].tobytes())
-                        out["left"].append(back[len(h) - p:len(h) - p + WINDOW].tobytes())
-            yield out
+                if len(pos):
+                    same = keys(h, pos) == key
+                    pos, key = pos[same], key[same]
+                start, low, found = windows(h, pos)
+                # windows of one minimiser follow each other
+                new = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1]))) if len(low) else start
+                of.append(np.full(len(new), i))
+                starts.append(start[new])
+                sizes.append(np.diff(np.append(new, len(low))))
+                names.append(key[np.searchsorted(pos, low[new])] if len(new) else key[:0])
+                hashes.append(found.view(np.int64))
+            if of:
+                of, sizes = pa.array(np.concatenate(of)), np.concatenate(sizes)
+                ends = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+                yield {"doc_id": b.column("doc_id").take(of), "row": b.column("row").take(of),
+                       "start": pa.array(np.concatenate(starts).astype(np.int32)), "n": pa.array(sizes.astype(np.int32)),
+                       "key": pa.array(np.concatenate(names)), "h": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(hashes)))}
 
     joined = src.join(places, src["doc_id"].eqNullSafe(places["id"])).drop("id")
-    array = written(arrow_rows(joined, f"doc_id {kind}, row bigint, pos int, key bigint, right binary, left binary", contexts),
-                    "suffix-contexts")
-
-    found = None
-    for order in (["key", "right", "left", "row", "pos"], ["key", "left", "right", "row", "pos"]):
-        spans = _neighbours(array, order, kind)
-        found = spans if found is None else found.unionByName(spans)
+    runs = written(arrow_rows(joined, f"doc_id {kind}, row bigint, start int, n int, key bigint, h array<bigint>", hashed)
+                   .withColumn("whole", F.xxhash64("h")), "window-runs")
+    held = [F.min("row").alias("lo"), F.max("row").alias("hi"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last")]
+    by_key = written(runs.groupBy("key").agg(*held, (F.min("whole") != F.max("whole")).alias("differ")).where("lo < hi")
+                     .select("key", "first", "last", "differ"), "window-keys")
+    other = F.when(F.col("doc_id") == F.col("first"), F.col("last")).otherwise(F.col("first")).alias("other")
+    equal = (runs.select("doc_id", "row", "start", "n", "key").join(by_key.where("not differ"), "key")
+             .select("doc_id", "row", "start", "n", other))
+    single = written(runs.join(by_key.where("differ").select("key"), "key", "left_semi")
+                     .select("doc_id", "row", "key", "start", F.posexplode("h").alias("i", "w"))
+                     .select("doc_id", "row", (F.col("start") + F.col("i")).alias("start"), "key", "w"), "windows")
+    shared = single.groupBy("key", "w").agg(*held).where("lo < hi").select("key", "w", "first", "last")
+    some = single.join(shared, ["key", "w"]).select("doc_id", "row", "start", F.lit(1).alias("n"), other)
+    by_doc = (equal.unionByName(some).groupBy("doc_id", "row")
+              .agg(F.sort_array(F.collect_list(F.struct("start", "n", "other"))).alias("at")))
 
     def join_up(batches):
         for b in batches:
             out: dict[str, list] = {n: [] for n in ("doc_id", "row", "first_word", "end_word", "n_words", "match_doc_id")}
-            for doc, row, spans in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            for doc, row, at in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 merged: list[list] = []
-                for s in spans:
-                    if merged and s["lo"] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], s["hi"])
+                for x in at:
+                    lo, hi, match = x["start"], x["start"] + x["n"] - 1 + MIN_WORDS, x["other"]
+                    if merged and lo <= merged[-1][1]:
+                        last = merged[-1]
+                        last[1] = max(last[1], hi)
+                        if match is not None and (last[2] is None or match < last[2]):
+                            last[2] = match
                     else:
-                        merged.append([s["lo"], s["hi"], s["other"]])
-                for lo, hi, other in merged:
-                    for n, v in zip(out, (doc, row, lo, hi, hi - lo, other), strict=True):
+                        merged.append([lo, hi, match])
+                for lo, hi, match in merged:
+                    for n, v in zip(out, (doc, row, lo, hi, hi - lo, match), strict=True):
                         out[n].append(v)
             yield out
 
-    by_doc = (found.distinct().groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "other"))).alias("spans")))
     return arrow_rows(by_doc, f"doc_id {kind}, row bigint, first_word int, end_word int, n_words int, match_doc_id {kind}", join_up)
 
 
-def _neighbours(array: DataFrame, order: list[str], kind: str) -> DataFrame:
-    """Spans of the repeats that neighbours in this order show."""
-    columns = ["doc_id", "row", "pos", "right", "left"]
-    span = ["doc_id", "row", "lo", "hi", "other"]
-    names = ["pid", "part", *columns, "lo", "hi", "other"]
-    schema = f"pid int, part string, doc_id {kind}, row bigint, pos int, right binary, left binary, lo int, hi int, other {kind}"
-
-    def table(rows: list[tuple]) -> dict:
-        return dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)) if rows else {n: [] for n in names}
-
-    def run(batches):
-        pid, last, near, other = TaskContext.get().partitionId(), None, [], None
-        run_of_row: list[list] = []  # suffixes with one key since the row last changed: a text that repeats itself
-        for b in batches:
-            rows = []
-            for x in zip(*(b.column(c).to_pylist() for c in columns), strict=True):
-                x = [*x, 0, 0]
-                if last is None:
-                    rows.append((pid, "head", *x[:5], None, None, None))
-                elif last[1] != x[1]:
-                    other = last  # the nearest of another row
-                    for y in run_of_row[:-NEAREST]:
-                        rows += [(pid, "span", *s[:2], None, None, None, *s[2:]) for s in _match(y, x)]
-                    run_of_row = []
-                for y in near if other is None or any(y is other for y in near) else [*near, other]:
-                    if y[1] != x[1]:
-                        rows += [(pid, "span", *s[:2], None, None, None, *s[2:]) for s in _match(y, x)]
-                if run_of_row and run_of_row[-1][3][:4 * KEY] != x[3][:4 * KEY]:
-                    run_of_row = []
-                run_of_row.append(x)
-                near, last = [*near[1 - NEAREST:], x], x
-            yield table(rows)
-        if last is not None:
-            yield table([(pid, "open", *last[:5], None, None, None)])
-
-    ranged = array.select("key", *columns).repartitionByRange(*order).sortWithinPartitions(*order).select(*columns)
-    parts = written(arrow_rows(ranged, schema, run), "suffix-spans")
-    ends = (parts.where("part = 'open'").select("pid", *columns).join(following(parts.where("part = 'head'"), around=False), "pid")
-            .join(parts.where("part = 'head'").select(F.col("pid").alias("next_pid"), *[F.col(c).alias(f"n_{c}") for c in columns]), "next_pid")
-            .select(*columns, *[f"n_{c}" for c in columns]))
-
-    def meet(batches):
-        for b in batches:
-            rows = [s for x in zip(*(b.column(i).to_pylist() for i in range(10)), strict=True) if x[1] != x[6]
-                    for s in _match([*x[:5], 0, 0], [*x[5:], 0, 0])]
-            yield dict(zip(span, map(list, zip(*rows, strict=True)), strict=True)) if rows else {n: [] for n in span}
-
-    return parts.where("part = 'span'").select(*span).unionByName(
-        arrow_rows(ends, f"doc_id {kind}, row bigint, lo int, hi int, other {kind}", meet))
-
-
 def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """``doc_id`` and the words of each text outside its repeated passages but
     for the copy in the smallest doc_id; ids must be unique."""

@@ -1,8 +1,10 @@
 """Places where the training-data operators once did less than the whole job."""
 
+import random
+
 import pytest
 
-from rollcall.llm import fingerprints, licenses, line_dedup
+from rollcall.llm import fingerprints, licenses, line_dedup, suffix_dedup
 
 
 def test_short_lines_repeat(spark):
@@ -58,3 +60,41 @@ def test_tags_within_a_line(line, labels, accepted):
 def test_tags_without_an_expression(line):
     found = licenses.scan(line.encode())
     assert (found["labels"], found["expressions"], found["accepted"]) == ("", 0, None)
+
+
+def passages(texts):
+    """Spans of the words that stand in a window of 50 words which another text has too."""
+    seen = {}
+    for d, w in enumerate(texts):
+        for i in range(len(w) - 49):
+            seen.setdefault(tuple(w[i:i + 50]), set()).add(d)
+    spans = set()
+    for d, w in enumerate(texts):
+        own = []
+        for i in range(len(w) - 49):
+            if len(seen[tuple(w[i:i + 50])]) > 1:
+                if own and i <= own[-1][1]:
+                    own[-1][1] = i + 50
+                else:
+                    own.append([i, i + 50])
+        spans |= {(d, *s) for s in own}
+    return spans
+
+
+def found_passages(spark, texts):
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(texts)], "doc_id long, text string")
+    return {(r.doc_id, r.first_word, r.end_word) for r in suffix_dedup.repeated_passages(docs).collect()}
+
+
+def test_many_quotes_and_near_copies(spark):
+    r = random.Random(11)
+    source = [f"s{i}" for i in range(300)]
+    texts = []
+    for d in range(200):
+        n = r.randrange(50, 56)
+        lo = r.randrange(len(source) - n)
+        texts.append([f"a{d}x{i}" for i in range(20)] + source[lo:lo + n] + [f"b{d}x{i}" for i in range(20)])
+    base = [f"n{i}" for i in range(150)]
+    for _ in range(300):
+        texts.append([f"{w}e{r.randrange(3)}" if r.random() < 1 / 15 else w for w in base])
+    assert found_passages(spark, texts) == passages(texts)
