@@ -98,3 +98,17 @@ def test_many_quotes_and_near_copies(spark):
     for _ in range(300):
         texts.append([f"{w}e{r.randrange(3)}" if r.random() < 1 / 15 else w for w in base])
     assert found_passages(spark, texts) == passages(texts)
+
+
+def test_text_that_repeats_itself_over_many_partitions(spark):
+    passage = [f"p{i}" for i in range(60)]
+    texts = [[f"a{i}" for i in range(30)] + passage * 400, [f"b{i}" for i in range(30)] + passage * 3 + [f"c{i}" for i in range(30)]]
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for both in (texts, texts[::-1]):
+            assert found_passages(spark, both) == passages(both)
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
