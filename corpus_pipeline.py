@@ -30,12 +30,17 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the n-gram Jaccard join (operator 6):
-    that with the component's id.  Rows without a doc_id have no other to be
-    compared by and stay."""
-    docs = docs.select(*COLUMNS)
-    gone = (jaccard_join.jaccard_components(docs).where("component_id != doc_id").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each component of the n-gram Jaccard join (operator 6): that
+    with the smallest doc_id, null ids last, and of these the first.  Rows are
+    numbered for this, as they may share a doc_id or have none."""
+    docs = written(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "near-docs")
+    near = written(jaccard_join.jaccard_components(docs, id_column="row").select("row", "component_id")
+                   .join(docs.select("row", "doc_id"), "row"), "near-rows")
+    place = F.struct(F.col("doc_id").isNull().alias("nulls"), "doc_id", "row")
+    first = (near.groupBy("component_id").agg(F.min(place)["row"].alias("first"), F.count("*").alias("k"))
+             .where("k > 1").select("component_id", "first"))
+    gone = near.join(first, "component_id").where("row != first").select("row")
+    return docs.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -112,3 +112,20 @@ def test_text_that_repeats_itself_over_many_partitions(spark):
     finally:
         for k, v in was.items():
             spark.conf.set(k, v)
+
+
+def test_near_dedup_decides_by_row(spark):
+    import corpus_pipeline
+
+    def text(name, change=None):
+        return " ".join("changed" if i == change else f"{name}{i}" for i in range(100))
+
+    rows = [(None, text("a")), (None, text("a", 3)), (4, text("a", 50)),  # one stays, with an id
+            (7, text("b")), (9, text("b", 5)), (9, text("c")), (9, text("c", 2)),  # 9 has two other texts
+            (None, text("d")), (None, text("d", 7)), (None, ""), (None, None), (1, text("e"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.drop_near_copies(spark, docs.coalesce(1), "").collect()
+    assert docs.columns == list(left[0].asDict())
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted(
+        [rows[2], rows[3], rows[5], rows[7], (None, ""), (None, None), rows[11]], key=str)
