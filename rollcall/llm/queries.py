@@ -38,7 +38,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.repeated_passages(read(spark, sf_dir, "documents")).drop("row")
+    return suffix_dedup.repeated_passages(read(spark, sf_dir, "documents")).drop("row", "pieces")
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,7 +99,10 @@ def windows(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row per repeated passage: ``doc_id, row, first_word, end_word,
-    n_words, match_doc_id`` (the smallest of the documents that share part of it)."""
+    n_words, match_doc_id`` (the smallest document that shares part of it; where
+    that is the document itself, another one) and ``pieces``: the runs of its
+    windows (``first_word, end_word``, which may overlap) whose smallest document,
+    itself included, is ``first_doc_id``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     src = docs.select("doc_id", "text")
 
@@ -157,19 +160,20 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     by_key = written(runs.groupBy("key").agg(*held, (F.min("whole") != F.max("whole")).alias("differ")).where("lo < hi")
                      .select("key", "first", "last", "differ"), "window-keys")
     other = F.when(F.col("doc_id") == F.col("first"), F.col("last")).otherwise(F.col("first")).alias("other")
+    parts = ["doc_id", "row", "start", "n", "first", other]
     equal = (runs.select("doc_id", "row", "start", "n", "key").join(by_key.where("not differ"), "key")
-             .select("doc_id", "row", "start", "n", other))
+             .select(*parts))
     single = written(runs.join(by_key.where("differ").select("key"), "key", "left_semi")
                      .select("doc_id", "row", "key", "start", F.posexplode("h").alias("i", "w"))
                      .select("doc_id", "row", (F.col("start") + F.col("i")).alias("start"), "key", "w"), "windows")
     shared = single.groupBy("key", "w").agg(*held).where("lo < hi").select("key", "w", "first", "last")
-    some = single.join(shared, ["key", "w"]).select("doc_id", "row", "start", F.lit(1).alias("n"), other)
+    some = single.join(shared, ["key", "w"]).withColumn("n", F.lit(1)).select(*parts)
     by_doc = (equal.unionByName(some).groupBy("doc_id", "row")
-              .agg(F.sort_array(F.collect_list(F.struct("start", "n", "other"))).alias("at")))
+              .agg(F.sort_array(F.collect_list(F.struct("start", "n", "first", "other"))).alias("at")))
 
     def join_up(batches):
         for b in batches:
-            out: dict[str, list] = {n: [] for n in ("doc_id", "row", "first_word", "end_word", "n_words", "match_doc_id")}
+            out: dict[str, list] = {n: [] for n in ("doc_id", "row", "first_word", "end_word", "n_words", "match_doc_id", "pieces")}
             for doc, row, at in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 merged: list[list] = []
                 for x in at:
@@ -179,24 +183,38 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
                         last[1] = max(last[1], hi)
                         if match is not None and (last[2] is None or match < last[2]):
                             last[2] = match
+                        piece = last[3][-1]
+                        if x["first"] == piece["first_doc_id"] and lo <= piece["end_word"] - MIN_WORDS + 1:
+                            piece["end_word"] = max(piece["end_word"], hi)
+                            continue
                     else:
-                        merged.append([lo, hi, match])
-                for lo, hi, match in merged:
-                    for n, v in zip(out, (doc, row, lo, hi, hi - lo, match), strict=True):
+                        merged.append([lo, hi, match, []])
+                    merged[-1][3].append({"first_word": lo, "end_word": hi, "first_doc_id": x["first"]})
+                for lo, hi, match, pieces in merged:
+                    for n, v in zip(out, (doc, row, lo, hi, hi - lo, match, pieces), strict=True):
                         out[n].append(v)
             yield out
 
-    return arrow_rows(by_doc, f"doc_id {kind}, row bigint, first_word int, end_word int, n_words int, match_doc_id {kind}", join_up)
+    return arrow_rows(by_doc, f"doc_id {kind}, row bigint, first_word int, end_word int, n_words int, match_doc_id {kind}, "
+                      f"pieces array<struct<first_word:int,end_word:int,first_doc_id:{kind}>>", join_up)
 
 
 def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """``doc_id`` and the words of each text outside its repeated passages but
-    for the copy in the smallest doc_id; ids must be unique."""
-    later = passages.where("match_doc_id < doc_id").groupBy("doc_id").agg(
-        F.collect_list(F.struct("first_word", "end_word")).alias("spans"))
+    for the copy in the smallest doc_id; ids must be unique.  Every window of
+    ``MIN_WORDS`` words stays whole in the smallest document that has it, so
+    words that two passages share go only if neither has its first copy here."""
+    later = (passages.select("doc_id", F.explode("pieces").alias("p")).groupBy("doc_id")
+             .agg(F.collect_list(F.when(F.col("p.first_doc_id") < F.col("doc_id"), F.col("p"))).alias("spans"),
+                  F.collect_list(F.when(F.col("p.first_doc_id") == F.col("doc_id"), F.col("p"))).alias("own"))
+             .where(F.size("spans") > 0))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def inside(spans: str, x):
+        return F.exists(F.col(spans), lambda s: (x["i"] >= s["first_word"]) & (x["i"] < s["end_word"]))
+
     kept = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
-                    lambda x: ~F.exists(F.col("spans"), lambda s: (x["i"] >= s["first_word"]) & (x["i"] < s["end_word"])))
+                    lambda x: inside("own", x) | ~inside("spans", x))
     return docs.join(later, "doc_id", "left").select(
         "doc_id", F.when(F.col("spans").isNull(), F.col("text")).otherwise(
             F.array_join(F.transform(kept, lambda x: x["w"]), " ")).alias("text"))

@@ -129,3 +129,25 @@ def test_near_dedup_decides_by_row(spark):
     assert docs.columns == list(left[0].asDict())
     assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted(
         [rows[2], rows[3], rows[5], rows[7], (None, ""), (None, None), rows[11]], key=str)
+
+
+def test_one_copy_of_every_passage_stays(spark):
+    def some(name, n=60):
+        return [f"{name}{i}" for i in range(n)]
+
+    p, q, z = some("p"), some("q"), some("z", 90)
+    texts = {2: some("a", 9) + p, 5: some("b", 9) + p + q + some("c", 9), 9: some("d", 9) + q, 1: z[:60] + some("e", 9),
+             3: some("f", 9) + z, 4: z[30:] + some("g", 9), 8: q + p + z, 7: p}
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id long, text string")
+    found = suffix_dedup.repeated_passages(docs)
+    assert {r.doc_id: r.match_doc_id for r in found.where("doc_id in (5, 9)").collect()} == {5: 2, 9: 5}
+    left = {r.doc_id: (r.text or "").split() for r in suffix_dedup.without_passages(docs, found).collect()}
+    assert left[5] == some("b", 9) + q + some("c", 9) and left[9] == some("d", 9) and left[7] == [] and left[2] == texts[2]
+    # every window of 50 words is still in the smallest document that has it
+    windows = {d: {tuple(w[i:i + 50]) for i in range(len(w) - 49)} for d, w in texts.items()}
+    for d, mine in windows.items():
+        for w in mine:
+            first = min(x for x in windows if w in windows[x])
+            if any(w in windows[x] for x in windows if x != first):
+                t = left[first]
+                assert any(tuple(t[i:i + 50]) == w for i in range(len(t) - 49)), (d, w[0])
