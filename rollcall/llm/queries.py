@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fingerprints, jaccard_join, language, licenses, line_dedup, mixing, quality, suffix_dedup
+from . import (bpe, conversations, exact_dedup, fingerprints, jaccard_join, language, licenses, line_dedup, merkle, mixing,
+               quality, suffix_dedup)
 from .common import read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -72,6 +73,14 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edited(read(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(read(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(conversations.damaged(read(spark, sf_dir, "conversations")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -79,7 +88,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_license_scan, op2_exact_dedup, op3_mixing, op4_suffix_dedup, op5_bpe, op6_ngram_jaccard, op7_quality,
-    op8_language_id, op9_line_dedup, op10_fingerprints, pipeline)}
+    op8_language_id, op9_line_dedup, op10_fingerprints, op11_merkle_manifest, op13_conversation_repair, pipeline)}
 
 #: DuckDB SQL where it can express the result; the others are tested against
 #: brute force, an exact round trip or held-out accuracy in tests/llm.
