@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe, conversations, exact_dedup, fingerprints, jaccard_join, language, licenses, line_dedup, merkle, mixing,
-               quality, suffix_dedup)
+               quality, substrings, suffix_dedup)
 from .common import read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -77,6 +77,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(read(spark, sf_dir, "documents"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.without_repeats(substrings.repeated_spans(read(spark, sf_dir, "documents")))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(conversations.damaged(read(spark, sf_dir, "conversations")))
 
@@ -88,7 +93,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_license_scan, op2_exact_dedup, op3_mixing, op4_suffix_dedup, op5_bpe, op6_ngram_jaccard, op7_quality,
-    op8_language_id, op9_line_dedup, op10_fingerprints, op11_merkle_manifest, op13_conversation_repair, pipeline)}
+    op8_language_id, op9_line_dedup, op10_fingerprints, op11_merkle_manifest,
+    op12_substring_dedup, op13_conversation_repair, pipeline)}
 
 #: DuckDB SQL where it can express the result; the others are tested against
 #: brute force, an exact round trip or held-out accuracy in tests/llm.
