@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from . import checks, core, domains  # noqa: F401  (registers CTEs)
+from . import checks, core, domains, programs  # noqa: F401  (registers CTEs)
 from .base import assemble
 
 ORACLE: dict[str, str] = {}

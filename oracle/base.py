@@ -86,7 +86,8 @@ SELECT nt.tenant_code, 2024 AS api_year, {K('nt.tenant_code', 's.s_suppkey')} AS
 FROM supplier s JOIN nation_tenant nt ON s.s_nationkey = nt.n_nationkey""", "nation_tenant")
 
 cte("home_school", """
-SELECT s.s_suppkey AS home_school_id, nt.tenant_code, s.s_nationkey AS home_nationkey
+SELECT s.s_suppkey AS home_school_id, nt.tenant_code, s.s_nationkey AS home_nationkey,
+       row_number() OVER (ORDER BY s.s_suppkey) - 1 AS school_index
 FROM supplier s JOIN nation_tenant nt ON s.s_nationkey = nt.n_nationkey
 """, "nation_tenant")
 
@@ -132,29 +133,41 @@ FROM stg_schools CROSS JOIN (VALUES ('Year Round', DATE '2024-01-01', DATE '2024
     "stg_schools")
 
 cte("customer_home", """
-SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment, c.c_custkey % (SELECT count(*) FROM supplier) AS home_school_id,
-       h.tenant_code, h.home_nationkey
-FROM customer c JOIN home_school h ON c.c_custkey % (SELECT count(*) FROM supplier) = h.home_school_id""", "home_school")
+SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment, h.home_school_id,
+       h.tenant_code, h.home_nationkey, h.school_index
+FROM customer c JOIN home_school h ON c.c_custkey % (SELECT count(*) FROM supplier) = h.school_index""", "home_school")
+
+cte("student_transfers", """
+SELECT c.c_custkey, n.tenant_code, n.home_school_id, c.c_name, c.c_mktsegment, c.c_custkey % 3 AS kind
+FROM customer_home c JOIN home_school n ON (c.school_index + 1) % (SELECT count(*) FROM home_school) = n.school_index
+WHERE c.c_custkey % 23 = 5 AND n.tenant_code <> c.tenant_code""", "customer_home", "home_school")
 
 cte("stg_students", f"""
-SELECT tenant_code, y.sy AS api_year, y.sy AS school_year, {K('tenant_code', 'c_custkey', 'y.sy')} AS k_student,
+SELECT tenant_code, sy AS api_year, sy AS school_year, {K('tenant_code', 'c_custkey', 'sy')} AS k_student,
        {K('tenant_code', 'c_custkey')} AS k_student_xyear, CAST(c_custkey AS VARCHAR) AS student_unique_id,
-       c_name AS first_name,
-       CASE WHEN y.sy = 2023 THEN 'Former ' ELSE '' END
+       CASE WHEN kind = 2 THEN 'Other ' ELSE '' END || c_name AS first_name,
+       CASE WHEN sy = 2023 THEN 'Former ' WHEN kind = 2 THEN 'Other ' ELSE '' END
          || upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) AS last_name,
        CASE WHEN c_custkey % 3 = 0 THEN 'Quinn' END AS middle_name,
-       DATE '2012-01-01' + CAST(c_custkey % 2000 AS INTEGER) AS birth_date, 'US' AS birth_country
-FROM customer_home CROSS JOIN (VALUES (2024), (2023)) y(sy)
-WHERE y.sy = 2024 OR c_custkey % 2 = 0""", "customer_home")
+       DATE '2012-01-01' + CAST(c_custkey % 2000 + (CASE WHEN kind > 0 THEN 1 ELSE 0 END) AS INTEGER) AS birth_date,
+       'US' AS birth_country
+FROM (SELECT tenant_code, c_custkey, c_name, c_mktsegment, 0 AS kind, y.sy
+      FROM customer_home CROSS JOIN (VALUES (2024), (2023)) y(sy) WHERE y.sy = 2024 OR c_custkey % 2 = 0
+      UNION ALL
+      SELECT tenant_code, c_custkey, c_name, c_mktsegment, kind, 2024 FROM student_transfers)""",
+    "customer_home", "student_transfers")
 
 cte("stg_edorg_assoc", f"""
-SELECT tenant_code, y.sy AS api_year, {K('tenant_code', 'c_custkey', 'y.sy')} AS k_student,
+SELECT tenant_code, sy AS api_year, {K('tenant_code', 'c_custkey', 'sy')} AS k_student,
        {K('tenant_code', 'c_custkey')} AS k_student_xyear, CAST(home_school_id AS VARCHAR) AS ed_org_id,
        'School' AS ed_org_type, CASE WHEN c_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender,
+       CASE WHEN c_custkey % 14 = 0 THEN 'Nonbinary' END AS gender_identity,
        (c_custkey % 9 = 0) AS has_hispanic_latino_ethnicity,
        CASE WHEN c_custkey % 6 = 0 THEN 'Limited' END AS lep_code
-FROM customer_home CROSS JOIN (VALUES (2024), (2023)) y(sy)
-WHERE y.sy = 2024 OR c_custkey % 2 = 0""", "customer_home")
+FROM (SELECT tenant_code, c_custkey, home_school_id, y.sy
+      FROM customer_home CROSS JOIN (VALUES (2024), (2023)) y(sy) WHERE y.sy = 2024 OR c_custkey % 2 = 0
+      UNION ALL
+      SELECT tenant_code, c_custkey, home_school_id, 2024 FROM student_transfers)""", "customer_home", "student_transfers")
 
 cte("stg_races", f"""
 SELECT {K('tenant_code', 'c_custkey', '2024')} AS k_student, CAST(home_school_id AS VARCHAR) AS ed_org_id, r.race
@@ -183,12 +196,13 @@ SELECT tenant_code, c_custkey, home_school_id, 1 AS enrollment_seq,
          'Sixth grade'])[CAST(c_custkey % 7 AS INTEGER) + 1] AS entry_grade_level
 FROM customer_home
 UNION ALL
-SELECT tenant_code, c_custkey, home_school_id, 2,
+SELECT tenant_code, c_custkey, home_school_id, seq,
        {K('tenant_code', 'home_school_id', '2024', "'main'")},
        DATE '2024-01-03' + CAST(c_custkey % 5 AS INTEGER), NULL, NULL,
        (['Kindergarten', 'First grade', 'Second grade', 'Third grade', 'Fourth grade', 'Fifth grade',
          'Sixth grade'])[CAST(c_custkey % 7 AS INTEGER) + 1]
-FROM customer_home WHERE c_custkey % 11 = 0""", "customer_home")
+FROM (SELECT tenant_code, c_custkey, home_school_id, 2 AS seq FROM customer_home WHERE c_custkey % 11 = 0
+      UNION ALL SELECT tenant_code, c_custkey, home_school_id, 1 FROM student_transfers)""", "customer_home", "student_transfers")
 
 cte("stg_enrollments", f"""
 SELECT tenant_code, 2024 AS school_year, {K('tenant_code', 'c_custkey', '2024')} AS k_student,
@@ -199,12 +213,12 @@ FROM enr_raw""", "enr_raw")
 
 cte("stg_att_events", f"""
 SELECT h.tenant_code, 2024 AS api_year, 2024 AS school_year, {K('h.tenant_code', 'e.user_id', '2024')} AS k_student,
-       {K('h.tenant_code', 'e.user_id % (SELECT count(*) FROM supplier)')} AS k_school,
-       {K('h.tenant_code', 'e.user_id % (SELECT count(*) FROM supplier)', '2024',
+       {K('h.tenant_code', 'h.home_school_id')} AS k_school,
+       {K('h.tenant_code', 'h.home_school_id', '2024',
           "CASE WHEN e.event_id % 4 = 0 THEN 'Year Round' WHEN dayofmonth(CAST(e.ts AS DATE)) <= 15 "
           "THEN 'Half 1' ELSE 'Half 2' END")} AS k_session,
        CAST(e.ts AS DATE) AS attendance_event_date, e.event_type AS attendance_event_category,
        e.props AS attendance_event_reason, e.value AS event_duration,
        CAST(NULL AS DOUBLE) AS school_attendance_duration, strftime(e.ts, '%H:%M:%S') AS arrival_time,
        CAST(NULL AS VARCHAR) AS departure_time, 'Classroom' AS educational_environment
-FROM events e JOIN home_school h ON e.user_id % (SELECT count(*) FROM supplier) = h.home_school_id""", "home_school")
+FROM events e JOIN home_school h ON e.user_id % (SELECT count(*) FROM supplier) = h.school_index""", "home_school")

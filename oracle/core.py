@@ -4,6 +4,17 @@ from __future__ import annotations
 
 from .base import AS_OF, RATE, cte
 
+#: columns of dim_student by the build they come from
+CHARACTERISTICS = ["is_economic_disadvantaged", "is_gifted", "is_homeless_characteristic"]
+INDICATORS = ["has_iep", "reading_level"]
+GENERIC_PROGRAMS = ["is_high_support_active", "is_high_support_annual", "is_medium_support_annual", "is_medium_support_ever",
+                    "is_urgent_support_active", "is_urgent_support_annual", "is_urgent_support_ever"]
+OTHER_NAMES = [f"{t}_{p}" for t in ("alias", "previous_legal_name") for p in (
+    "personal_title_prefix", "first_name", "middle_name", "last_surname", "generation_code_suffix")]
+_PROGRAMS = {"special_education": "special_education", "language_instruction": "english_language_learner", "homeless": "homeless",
+             "title_i_part_a": "title_i", "cte": "cte", "food_services": "food_service", "migrant_education": "migrant_education"}
+PROGRAM_FLAGS = [f"is_{flag}_{t}" for flag in _PROGRAMS.values() for t in ("annual", "active")]
+
 cte("o_tenant_lea_ownership", """
 SELECT DISTINCT s.tenant_code, s.k_lea
 FROM stg_calendars c JOIN stg_schools s ON c.tenant_code = s.tenant_code AND c.k_school = s.k_school""",
@@ -121,7 +132,7 @@ QUALIFY row_number() OVER (PARTITION BY k_student
     "stg_edorg_assoc")
 
 cte("o_stu_race", """
-SELECT d.k_student, d.ed_org_id, r.race_array,
+SELECT d.k_student, d.ed_org_id, d.has_hispanic_latino_ethnicity, r.race_array,
        CASE WHEN coalesce(d.has_hispanic_latino_ethnicity, false) THEN 'Latinx'
             WHEN coalesce(len(r.race_array), 0) > 1 THEN 'Multiple'
             WHEN coalesce(len(r.race_array), 0) = 1 THEN r.race_array[1]
@@ -147,24 +158,59 @@ FROM stg_characteristics c LEFT JOIN xwalk_student_characteristics x
   ON c.student_characteristic = x.characteristic_descriptor
 GROUP BY 1, 2, 3, 4, 5""", "stg_characteristics", "xwalk_student_characteristics")
 
-cte("o_dim_student", """
-SELECT s.k_student, s.k_student_xyear, s.tenant_code, s.school_year, s.student_unique_id,
-       s.first_name, s.middle_name, s.last_name,
+cte("o_immutable_stu_demos", """
+SELECT s.k_student, s.k_student_xyear, s.tenant_code, s.api_year AS school_year, d.ed_org_id, s.first_name, s.middle_name, s.last_name,
        s.last_name || ', ' || s.first_name || coalesce(' ' || left(s.middle_name, 1), '') AS display_name,
        s.last_name || ', ' || s.first_name || coalesce(' ' || left(s.middle_name, 1), '')
          || ' (' || s.student_unique_id || ')' AS safe_display_name,
-       s.birth_date, d.ed_org_id, d.gender, d.lep_code, d.has_hispanic_latino_ethnicity,
-       r.race_ethnicity, r.race_array, g.entry_grade_level AS grade_level, g.grade_level_integer,
-       coalesce(c.is_economic_disadvantaged, false) AS is_economic_disadvantaged,
-       coalesce(c.is_gifted, false) AS is_gifted,
-       coalesce(c.is_homeless_characteristic, false) AS is_homeless_characteristic,
-       s.school_year = max(s.school_year) OVER (PARTITION BY s.k_student_xyear) AS is_latest_record
+       s.birth_date, s.birth_country, d.gender, d.gender_identity, r.race_ethnicity, r.race_array, r.has_hispanic_latino_ethnicity
+FROM stg_students s
+JOIN o_choose_stu_demos d ON s.k_student = d.k_student
+LEFT JOIN o_stu_race r ON d.k_student = r.k_student AND d.ed_org_id = r.ed_org_id""",
+    "stg_students", "o_choose_stu_demos", "o_stu_race")
+
+
+def _dim_student(programs: dict[str, tuple[str, tuple[str, ...]]], others: list[str], grade: str, more: str = "") -> tuple:
+    """SQL of the dimension and what it needs; ``programs``: relation -> (flag, taken columns)."""
+    def columns(alias, names, default=None):
+        return "".join(f", coalesce({alias}.{n}, {default}) AS {n}" if default else f", {alias}.{n}" for n in names)
+    flags = "".join(columns(f"p_{rel}", [f"is_{flag}_{t}" if "_" not in t else t for t in taken], "false")
+                    for rel, (flag, taken) in programs.items())
+    joins = "".join(f"\nLEFT JOIN o_program_{rel} p_{rel} ON s.k_student = p_{rel}.k_student" for rel in programs)
+    return f"""
+SELECT s.k_student, s.k_student_xyear, s.tenant_code, s.api_year AS school_year, s.student_unique_id, i.district_student_id,
+       i.state_student_id, m.first_name, m.middle_name, m.last_name, m.display_name, m.birth_date, m.birth_country, d.lep_code,
+       m.gender, m.gender_identity, g.entry_grade_level AS grade_level, g.grade_level_integer, m.race_ethnicity,
+       m.has_hispanic_latino_ethnicity{flags}{columns('c', CHARACTERISTICS, 'false')}{columns('n', INDICATORS)}
+       {columns('q', GENERIC_PROGRAMS, 'false')}{columns('o', others)}{more},
+       s.school_year = max(s.school_year) OVER (PARTITION BY s.k_student_xyear) AS is_latest_record,
+       m.race_array, y.cohort_year_array, m.safe_display_name, d.ed_org_id
 FROM stg_students s
 JOIN o_choose_stu_demos d ON s.k_student = d.k_student
-LEFT JOIN o_stu_race r ON s.k_student = r.k_student AND d.ed_org_id = r.ed_org_id
-LEFT JOIN o_stu_grade g ON s.k_student = g.k_student AND s.school_year = g.school_year
-LEFT JOIN o_stu_chars c ON s.k_student = c.k_student AND d.ed_org_id = c.ed_org_id""",
-    "stg_students", "o_choose_stu_demos", "o_stu_race", "o_stu_grade", "o_stu_chars")
+JOIN o_immutable_stu_demos m ON d.k_student = m.k_student AND d.ed_org_id = m.ed_org_id
+LEFT JOIN o_wide_ids_student i ON d.k_student = i.k_student AND d.ed_org_id = i.ed_org_id
+LEFT JOIN o_stu_chars c ON d.k_student = c.k_student AND d.ed_org_id = c.ed_org_id
+LEFT JOIN o_student_indicators n ON d.k_student = n.k_student AND d.ed_org_id = n.ed_org_id
+LEFT JOIN o_student_programs q ON d.k_student = q.k_student AND d.ed_org_id = q.ed_org_id
+LEFT JOIN {grade} g ON d.k_student = g.k_student AND s.api_year = g.school_year
+LEFT JOIN o_cohort_years y ON d.k_student = y.k_student
+LEFT JOIN o_other_names o ON d.k_student = o.k_student{joins}""", (
+        "stg_students", "o_choose_stu_demos", "o_immutable_stu_demos", "o_wide_ids_student", "o_stu_chars", "o_student_indicators",
+        "o_student_programs", grade, "o_cohort_years", "o_other_names", *(f"o_program_{rel}" for rel in programs))
+
+
+_sql, _needs = _dim_student({b: (f, ("annual", "active")) for b, f in _PROGRAMS.items()}, OTHER_NAMES, "o_stu_grade")
+cte("o_dim_student", _sql, *_needs)
+# custom config: no food services, homeless flags without one program and with ever, an aggregate of title I, one other name
+_custom = {b: (f, ("annual", "active")) for b, f in _PROGRAMS.items() if b != "food_services"}
+_custom = {"homeless_custom" if b == "homeless" else "title_i_part_a_custom" if b == "title_i_part_a" else b: v for b, v in _custom.items()}
+_custom["homeless_custom"] = ("homeless", ("annual", "active", "ever"))
+_custom["title_i_part_a_custom"] = ("title_i", ("annual", "active", "has_open_title_i"))
+_sql, _needs = _dim_student(
+    _custom, [n for n in OTHER_NAMES if n.startswith("alias")], "o_stu_grade_custom",
+    ", (m.gender = 'Female' AND coalesce(c.is_gifted, false)) AS is_female_gifted, coalesce(n.has_iep, false) AS iep_on_file, "
+    "coalesce(g.grade_level_integer >= 3, false) AS is_upper_grade")
+cte("o_dim_student_custom", _sql, *_needs)
 
 # ---------------------------------------------------------------- enrollment
 cte("o_single_calendar_schools", """

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from .base import AS_OF, RATE, K, cte
+from .core import CHARACTERISTICS, GENERIC_PROGRAMS, INDICATORS, OTHER_NAMES, PROGRAM_FLAGS
 
-SUBGROUP_COLS = ["gender", "lep_code", "has_hispanic_latino_ethnicity", "race_ethnicity", "grade_level",
-                 "grade_level_integer", "is_economic_disadvantaged", "is_gifted", "is_homeless_characteristic"]
+SUBGROUP_COLS = ["birth_country", "lep_code", "gender", "gender_identity", "grade_level", "grade_level_integer", "race_ethnicity",
+                 "has_hispanic_latino_ethnicity", *PROGRAM_FLAGS, *CHARACTERISTICS, *INDICATORS, *GENERIC_PROGRAMS, *OTHER_NAMES]
 
 cte("xwalk_subgroup_category_display_names", """
 SELECT c AS subgroup_category, n AS subgroup_category_display_name
@@ -46,27 +47,24 @@ JOIN o_dim_subgroup d
 # ---------------------------------------------------------------- programs
 cte("orders_home", """
 SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority,
-       o.o_custkey % (SELECT count(*) FROM supplier) AS home_school_id, h.tenant_code, CAST(o.o_orderdate AS DATE) AS begin_date,
+       h.home_school_id, h.home_nationkey, h.tenant_code, CAST(o.o_orderdate AS DATE) AS begin_date,
        CASE WHEN year(o.o_orderdate) >= 1998 THEN 2024 ELSE 2023 END AS school_year
-FROM orders o JOIN home_school h ON o.o_custkey % (SELECT count(*) FROM supplier) = h.home_school_id""", "home_school")
+FROM orders o JOIN home_school h ON o.o_custkey % (SELECT count(*) FROM supplier) = h.school_index""", "home_school")
 
-cte("stg_programs", f"""
-SELECT tenant_code, {K('tenant_code', 'o_orderpriority')} AS k_program, o_orderpriority AS program_name,
-       o_orderpriority AS program_id,
+cte("o_dim_program", f"""
+SELECT {K('tenant_code', 'home_school_id', 'o_orderpriority')} AS k_program, {K('tenant_code', 'home_nationkey')} AS k_lea,
+       {K('tenant_code', 'home_school_id')} AS k_school, 2024 AS school_year, tenant_code,
+       CAST(home_school_id AS VARCHAR) AS ed_org_id, 'School' AS ed_org_type, o_orderpriority AS program_id,
+       o_orderpriority AS program_name,
        CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Intervention' ELSE 'Enrichment' END AS program_type
-FROM (SELECT DISTINCT tenant_code, home_school_id, o_orderpriority FROM orders_home) t""", "orders_home")
-
-cte("o_dim_program", """
-SELECT k_program, min(tenant_code) AS tenant_code, min(program_id) AS program_id, min(program_name) AS program_name,
-       min(program_type) AS program_type
-FROM stg_programs GROUP BY k_program""", "stg_programs")
+FROM (SELECT DISTINCT tenant_code, home_school_id, home_nationkey, o_orderpriority FROM orders_home) t""", "orders_home")
 
 cte("stg_prog_assoc", f"""
 SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
-       {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
+       {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'home_school_id', 'o_orderpriority')} AS k_program,
        {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
-       {K('tenant_code', 'home_school_id')} AS k_school, CAST(home_school_id AS VARCHAR) AS ed_org_id,
-       o_orderpriority AS program_name, begin_date AS program_enroll_begin_date,
+       {K('tenant_code', 'home_nationkey')} AS k_lea, {K('tenant_code', 'home_school_id')} AS k_school,
+       CAST(home_school_id AS VARCHAR) AS ed_org_id, o_orderpriority AS program_name, begin_date AS program_enroll_begin_date,
        CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
        o_orderstatus AS participation_status, (o_orderkey % 3 = 0) AS is_served_outside_regular_session,
        o_orderkey
@@ -104,51 +102,6 @@ LEFT JOIN (SELECT k_student_xyear, bool_or(is_medium_support_annual) AS is_mediu
     "o_student_programs_m")
 
 
-def _program_flags(name: str, excluded: tuple[str, ...], extra: str) -> str:
-    ex = ", ".join(f"'{e}'" for e in excluded)
-    keep = f"(program_name NOT IN ({ex}))"
-    return f"""
-SELECT m.*, x.is_{name}_ever
-FROM (SELECT k_student, k_student_xyear, min(tenant_code) AS tenant_code,
-             bool_or({keep} AND {_ACTIVE}) AS is_{name}_active,
-             bool_or({keep}) AS is_{name}_annual{extra}
-      FROM stg_prog_assoc GROUP BY k_student, k_student_xyear) m
-LEFT JOIN (SELECT k_student_xyear, bool_or(is_{name}_annual) AS is_{name}_ever
-           FROM (SELECT k_student, k_student_xyear, bool_or({keep}) AS is_{name}_annual
-                 FROM stg_prog_assoc GROUP BY 1, 2) a
-           GROUP BY 1) x ON m.k_student_xyear = x.k_student_xyear"""
-
-
-cte("o_program_homeless", _program_flags(
-    "homeless", ("3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"),
-    ", bool_or(is_served_outside_regular_session) AS is_served_outside_regular_session, "
-    "max(participation_status) AS participation_status"), "stg_prog_assoc")
-cte("o_program_title_i", _program_flags("title_i_part_a", ("1-URGENT",), ", count(*) AS n_title_i_enrollments"),
-    "stg_prog_assoc")
-
-cte("stg_prog_services", """
-SELECT a.tenant_code, a.k_student_program, a.k_student, a.k_student_xyear, a.k_program, a.k_school,
-       a.program_enroll_begin_date, s.svc AS program_service, s.svc = 'Tutoring' AS primary_indicator,
-       a.program_enroll_begin_date AS service_begin_date, a.program_enroll_end_date AS service_end_date
-FROM stg_prog_assoc a
-JOIN (VALUES ('Tutoring'), ('Counseling')) s(svc) ON s.svc = 'Tutoring' OR a.o_orderkey % 2 = 0""", "stg_prog_assoc")
-
-cte("o_program_services", """
-SELECT tenant_code, k_student_program, k_student, k_student_xyear, k_program, k_school, program_enroll_begin_date,
-       list_sort(list(program_service)) AS program_services
-FROM stg_prog_services GROUP BY ALL""", "stg_prog_services")
-
-cte("o_fct_program_service", """
-SELECT u.* FROM (
-  SELECT k_student_program, k_student, k_student_xyear, k_program, k_school, tenant_code, program_enroll_begin_date,
-         program_service, primary_indicator, service_begin_date, service_end_date, 'primary' AS program_source
-  FROM stg_prog_services WHERE primary_indicator
-  UNION ALL
-  SELECT k_student_program, k_student, k_student_xyear, k_program, k_school, tenant_code, program_enroll_begin_date,
-         program_service, primary_indicator, service_begin_date, CAST(NULL AS DATE), 'secondary'
-  FROM stg_prog_services WHERE NOT primary_indicator) u
-JOIN o_dim_program p ON u.k_program = p.k_program""", "stg_prog_services", "o_dim_program")
-
 # ---------------------------------------------------------------- finance
 cte("o_dim_local_account", f"""
 SELECT {K('tenant_code', 'o_custkey')} AS k_local_account, {K('tenant_code', 'home_school_id')} AS k_school,
@@ -197,8 +150,8 @@ SELECT l AS letter_grade, CAST(p AS DECIMAL(3,2)) AS unweighted_gpa_points, x AS
 FROM (VALUES ('a', 4.00, false, false, 1), ('n', 1.00, false, true, 2)) t(l, p, x, d, i)""")
 
 cte("part_home", """
-SELECT p.p_partkey, p.p_name, p.p_brand, p.p_type, p.p_size, p.p_partkey % (SELECT count(*) FROM supplier) AS home_school_id, h.tenant_code
-FROM part p JOIN home_school h ON p.p_partkey % (SELECT count(*) FROM supplier) = h.home_school_id""", "home_school")
+SELECT p.p_partkey, p.p_name, p.p_brand, p.p_type, p.p_size, h.home_school_id, h.tenant_code
+FROM part p JOIN home_school h ON p.p_partkey % (SELECT count(*) FROM supplier) = h.school_index""", "home_school")
 
 cte("o_dim_course", f"""
 SELECT {K('p.tenant_code', 'p.p_partkey')} AS k_course, {K('p.tenant_code', 'p.home_school_id')} AS k_school,
@@ -227,16 +180,16 @@ WHERE s.k_school IN (SELECT k_school FROM o_dim_school)""", "stg_schools", "o_di
 
 cte("stg_grades", f"""
 SELECT hs.tenant_code, 2024 AS school_year, {K('hs.tenant_code', 'o.o_custkey', '2024')} AS k_student,
-       {K('hs.tenant_code', 'o.o_custkey % (SELECT count(*) FROM supplier)')} AS k_school,
+       {K('hs.tenant_code', 'hs.home_school_id')} AS k_school,
        {K('hp.tenant_code', 'l.l_partkey', "'S1'")} AS k_course_section,
-       {K('hs.tenant_code', 'o.o_custkey % (SELECT count(*) FROM supplier)', '2024',
+       {K('hs.tenant_code', 'hs.home_school_id', '2024',
           "CASE WHEN l.l_linenumber % 2 = 0 THEN 'Third Quarter' ELSE 'Fourth Quarter' END")} AS k_grading_period,
        CASE WHEN l.l_linestatus = 'F' THEN 'Final' ELSE 'Grading Period' END AS grade_type,
        l.l_returnflag AS letter_grade_earned, l.l_quantity AS numeric_grade_earned
 FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey
-JOIN home_school hs ON o.o_custkey % (SELECT count(*) FROM supplier) = hs.home_school_id
-JOIN home_school hp ON l.l_partkey % (SELECT count(*) FROM supplier) = hp.home_school_id""", "home_school")
+JOIN home_school hs ON o.o_custkey % (SELECT count(*) FROM supplier) = hs.school_index
+JOIN home_school hp ON l.l_partkey % (SELECT count(*) FROM supplier) = hp.school_index""", "home_school")
 
 cte("o_fct_grades", """
 SELECT g.k_student, g.k_course_section, g.k_school, g.k_grading_period, g.grade_type, g.tenant_code, g.school_year,
@@ -253,10 +206,10 @@ LEFT JOIN xwalk_letter_grades x ON lower(g.letter_grade_earned) = x.letter_grade
 
 # ---------------------------------------------------------------- discipline
 cte("error_events", """
-SELECT e.event_id, e.ts, e.user_id, e.value, e.user_id % (SELECT count(*) FROM supplier) AS home_school_id, h.tenant_code,
+SELECT e.event_id, e.ts, e.user_id, e.value, h.home_school_id, h.tenant_code,
        CASE WHEN e.value >= 200 THEN 'Major' WHEN e.value >= 50 THEN 'Moderate' ELSE 'Minor' END AS behavior_type,
        CAST(e.ts AS DATE) AS incident_date
-FROM events e JOIN home_school h ON e.user_id % (SELECT count(*) FROM supplier) = h.home_school_id
+FROM events e JOIN home_school h ON e.user_id % (SELECT count(*) FROM supplier) = h.school_index
 WHERE e.event_type = 'error'""", "home_school")
 
 cte("stg_incident_behaviors", f"""
@@ -403,12 +356,29 @@ LEFT JOIN o_fct_program_service s
 # ---------------------------------------------------------------- assessments
 _NS = "'uri://rollcall.example/assessment'"
 
+def _asmt(t: str = "", *more: str, subjects: int = 1) -> str:
+    """Key of an assessment, or with more parts of what belongs to it."""
+    return K(f"{t}tenant_code", "2024", *["lower('Mathematics')"] * subjects, f"lower({t}o_orderpriority)", f"lower({_NS})", *more)
+
+
+def _stu_asmt(t: str = "") -> str:
+    return _asmt(t, f"lower(CAST({t}o_orderkey AS VARCHAR))", f"lower(CAST({t}o_custkey AS VARCHAR))")
+
+
+cte("assessment_orders", """
+SELECT tenant_code, o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, begin_date, school_year
+FROM orders_home
+UNION ALL
+SELECT t.tenant_code, o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderpriority, o.begin_date, o.school_year
+FROM orders_home o JOIN student_transfers t ON o.o_custkey = t.c_custkey WHERE o.o_orderkey % 5 = 0""",
+    "orders_home", "student_transfers")
+
 cte("stg_assessments", f"""
-SELECT tenant_code, 2024 AS api_year, {K('tenant_code', "'ASMT'", 'o_orderpriority')} AS k_assessment,
+SELECT tenant_code, 2024 AS api_year, {_asmt()} AS k_assessment,
        o_orderpriority AS assessment_identifier, {_NS} AS namespace,
        CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Screener' ELSE 'Benchmark' END AS assessment_family,
        'Assessment ' || o_orderpriority AS assessment_title, 'Mathematics' AS academic_subject
-FROM (SELECT DISTINCT tenant_code, o_orderpriority FROM orders_home) t""", "orders_home")
+FROM (SELECT DISTINCT tenant_code, o_orderpriority FROM assessment_orders) t""", "assessment_orders")
 
 cte("o_dim_assessment", """
 SELECT a.k_assessment, a.tenant_code, a.api_year AS school_year, a.assessment_identifier, a.namespace,
@@ -421,31 +391,31 @@ SELECT a.k_assessment, a.tenant_code, a.api_year AS school_year, a.assessment_id
 FROM stg_assessments a""", "stg_assessments")
 
 cte("stg_student_assessments", f"""
-SELECT tenant_code, 2024 AS api_year, school_year, {K('tenant_code', 'o_orderkey')} AS k_student_assessment,
-       {K('tenant_code', "'ASMT'", 'o_orderpriority')} AS k_assessment,
+SELECT tenant_code, 2024 AS api_year, school_year, {_stu_asmt()} AS k_student_assessment,
+       {_asmt()} AS k_assessment, CAST(o_custkey AS VARCHAR) AS student_unique_id, o_orderpriority, o_orderkey, o_custkey,
        {K('tenant_code', 'o_custkey', 'school_year')} AS k_student, {K('tenant_code', 'o_custkey')} AS k_student_xyear,
        CAST(o_orderkey AS VARCHAR) AS student_assessment_identifier, o_orderpriority AS assessment_identifier,
        {_NS} AS namespace, begin_date AS administration_date,
        CASE WHEN o_orderkey % 2 = 0 THEN 'Third grade' ELSE 'Fourth grade' END AS when_assessed_grade_level
-FROM orders_home""", "orders_home")
+FROM assessment_orders""", "assessment_orders")
 
 cte("o_long_results", f"""
 WITH stacked AS (
-  SELECT o.tenant_code, 2024 AS api_year, {K('o.tenant_code', 'o.o_orderkey')} AS k_student_assessment,
-         {K('o.tenant_code', "'ASMT'", 'o.o_orderpriority')} AS k_assessment, o.o_orderpriority AS assessment_identifier,
+  SELECT o.tenant_code, 2024 AS api_year, {_stu_asmt('o.')} AS k_student_assessment,
+         {_asmt('o.')} AS k_assessment, o.o_orderpriority AS assessment_identifier,
          {_NS} AS namespace,
          CASE l.l_linenumber % 3 WHEN 0 THEN 'Scale Score' WHEN 1 THEN 'Raw Score' ELSE 'Percentile' END AS score_name,
          CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) AS score_result
-  FROM lineitem l JOIN orders_home o ON l.l_orderkey = o.o_orderkey
+  FROM lineitem l JOIN assessment_orders o ON l.l_orderkey = o.o_orderkey
   UNION ALL
-  SELECT tenant_code, 2024, {K('tenant_code', 'o_orderkey')}, {K('tenant_code', "'ASMT'", 'o_orderpriority')},
+  SELECT tenant_code, 2024, {_stu_asmt()}, {_asmt()},
          o_orderpriority, {_NS}, 'Proficiency',
          CASE o_orderstatus WHEN 'F' THEN 'Proficient' WHEN 'O' THEN 'Approaching' ELSE 'Below' END
-  FROM orders_home
+  FROM assessment_orders
   UNION ALL
-  SELECT tenant_code, 2024, {K('tenant_code', 'o_orderkey')}, {K('tenant_code', "'ASMT'", 'o_orderpriority')},
+  SELECT tenant_code, 2024, {_stu_asmt()}, {_asmt()},
          o_orderpriority, {_NS}, 'Scale Score', 'Z'
-  FROM orders_home WHERE o_orderkey % 5 = 0
+  FROM assessment_orders WHERE o_orderkey % 5 = 0
 ), deduped AS (
   SELECT * FROM stacked
   QUALIFY row_number() OVER (PARTITION BY k_student_assessment, score_name ORDER BY score_result DESC NULLS FIRST) = 1
@@ -461,26 +431,31 @@ LEFT JOIN (VALUES (NULL, {_NS}, NULL, 'Scale Score', 'scale_score'),
   ON d.namespace = x.ns AND d.score_name = x.s
  AND coalesce(x.i, '1') = CASE WHEN x.i IS NULL THEN '1' ELSE d.assessment_identifier END
  AND coalesce(x.fam, '1') = CASE WHEN x.fam IS NULL THEN '1' ELSE f.assessment_family END""",
-    "orders_home", "o_dim_assessment")
+    "assessment_orders", "o_dim_assessment")
 
-cte("o_fct_student_assessment", """
-SELECT a.k_student_assessment, a.k_assessment, s.k_student, a.k_student_xyear, a.tenant_code,
-       a.student_assessment_identifier, a.school_year, a.administration_date, a.when_assessed_grade_level,
-       w.performance_level, w.raw_score, w.scale_score, o.v_other_results
-FROM stg_student_assessments a
-LEFT JOIN o_dim_student s ON a.k_student = s.k_student
+cte("o_asmt_scores", """
+SELECT k.k_student_assessment, w.performance_level, w.raw_score, w.scale_score, o.v_other_results
+FROM (SELECT DISTINCT k_student_assessment FROM o_long_results) k
 LEFT JOIN (SELECT k_student_assessment,
                   max(CASE WHEN normalized_score_name = 'performance_level' THEN score_result END) AS performance_level,
                   max(CASE WHEN normalized_score_name = 'raw_score' THEN score_result END) AS raw_score,
                   max(CASE WHEN normalized_score_name = 'scale_score' THEN score_result END) AS scale_score
            FROM o_long_results WHERE normalized_score_name <> 'other' GROUP BY 1) w
-  ON a.k_student_assessment = w.k_student_assessment
+  ON k.k_student_assessment = w.k_student_assessment
 LEFT JOIN (SELECT k_student_assessment,
                   array_to_string(list_sort(list(original_score_name || '=' || score_result)), ',') AS v_other_results
            FROM o_long_results WHERE normalized_score_name = 'other' GROUP BY 1) o
-  ON a.k_student_assessment = o.k_student_assessment
+  ON k.k_student_assessment = o.k_student_assessment""", "o_long_results")
+
+cte("o_fct_student_assessment", """
+SELECT a.k_student_assessment, a.k_assessment, s.k_student, a.k_student_xyear, a.tenant_code,
+       a.student_assessment_identifier, a.school_year, a.administration_date, a.when_assessed_grade_level,
+       f.performance_level, f.raw_score, f.scale_score, f.v_other_results
+FROM stg_student_assessments a
+LEFT JOIN o_dim_student s ON a.k_student = s.k_student
+LEFT JOIN o_asmt_scores f ON a.k_student_assessment = f.k_student_assessment
 WHERE a.k_student_xyear IN (SELECT k_student_xyear FROM o_dim_student)""",
-    "stg_student_assessments", "o_dim_student", "o_long_results")
+    "stg_student_assessments", "o_dim_student", "o_asmt_scores")
 
 cte("o_q10", """
 SELECT a.k_student_assessment, s.k_student, a.school_year, TRY_CAST(l.score_result AS INTEGER) AS percentile
@@ -500,8 +475,8 @@ SELECT hs.tenant_code, 2024 AS school_year, {K('hs.tenant_code', 'o.o_custkey',
        l.l_linenumber = 1 AS is_homeroom
 FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey
-JOIN home_school hs ON o.o_custkey % (SELECT count(*) FROM supplier) = hs.home_school_id
-JOIN home_school hp ON l.l_partkey % (SELECT count(*) FROM supplier) = hp.home_school_id""", "home_school")
+JOIN home_school hs ON o.o_custkey % (SELECT count(*) FROM supplier) = hs.school_index
+JOIN home_school hp ON l.l_partkey % (SELECT count(*) FROM supplier) = hp.school_index""", "home_school")
 
 _ACTIVE_SEC = f"""CASE WHEN x.school_year = max(x.school_year) OVER (PARTITION BY x.tenant_code)
                  AND (x.end_date IS NULL OR x.end_date >= {AS_OF}) AND x.begin_date <= {AS_OF}
@@ -569,8 +544,8 @@ FROM (SELECT s.tenant_code, 2024 AS school_year, {K('s.tenant_code', 's.staff_un
              {K('p.tenant_code', 'p.p_partkey', "'S1'")} AS k_course_section, DATE '2024-01-01' AS begin_date,
              CASE WHEN s.c_custkey % 5 = 0 THEN DATE '2024-01-20' END AS end_date,
              'Teacher of Record' AS classroom_position
-      FROM staff_home s JOIN part_home p
-        ON s.c_custkey = p.p_partkey % (SELECT count(*) FROM customer) AND p.p_size < 45) x
+      FROM (SELECT *, row_number() OVER (ORDER BY c_custkey) - 1 AS staff_index FROM staff_home) s JOIN part_home p
+        ON s.staff_index = p.p_partkey % (SELECT count(*) FROM customer) AND p.p_size < 45) x
 JOIN o_dim_staff d ON x.k_staff = d.k_staff
 JOIN o_dim_course_section c ON x.k_course_section = c.k_course_section""",
     "staff_home", "part_home", "o_dim_staff", "o_dim_course_section")
@@ -675,15 +650,17 @@ SELECT tenant_code, k_student_xyear, k_parent, count(DISTINCT school_year) AS n_
 FROM o_fct_student_parent GROUP BY 1, 2, 3 HAVING count(DISTINCT school_year) > 1""", "o_fct_student_parent")
 
 # ---------------------------------------------------------------- other names, indicators
+_PARTS = {"personal_title_prefix": "CASE WHEN c.c_custkey % 6 = 0 THEN 'Dr.' END",
+          "first_name": "substring(c.c_name, 1, 3) || '-' || left(x.t, 1)",
+          "middle_name": "CASE WHEN c.c_custkey % 4 = 0 THEN 'Lou' END", "last_surname": "upper(c.c_mktsegment)",
+          "generation_code_suffix": "CASE WHEN c.c_custkey % 9 = 0 THEN 'Jr.' END"}
 cte("o_other_names", f"""
 SELECT tenant_code, api_year, k_student, k_student_xyear,
-       min(CASE WHEN t = 'Alias' THEN fn END) AS alias_first_name,
-       min(CASE WHEN t = 'Alias' THEN ln END) AS alias_last_surname,
-       min(CASE WHEN t = 'Previous Legal Name' THEN fn END) AS previous_legal_name_first_name,
-       min(CASE WHEN t = 'Previous Legal Name' THEN ln END) AS previous_legal_name_last_surname
+       {", ".join(f"min(CASE WHEN t = '{t}' THEN {p} END) AS {t.lower().replace(' ', '_')}_{p}"
+                  for t in ("Alias", "Previous Legal Name") for p in _PARTS)}
 FROM (SELECT c.tenant_code, 2024 AS api_year, {K('c.tenant_code', 'c.c_custkey', '2024')} AS k_student,
              {K('c.tenant_code', 'c.c_custkey')} AS k_student_xyear, x.t,
-             substring(c.c_name, 1, 3) || '-' || left(x.t, 1) AS fn, upper(c.c_mktsegment) AS ln
+             {", ".join(f"{sql} AS {p}" for p, sql in _PARTS.items())}
       FROM customer_home c JOIN (VALUES ('Alias'), ('Previous Legal Name')) x(t)
         ON x.t = 'Alias' OR c.c_custkey % 3 = 0) o
 GROUP BY 1, 2, 3, 4""", "customer_home")
@@ -918,7 +895,7 @@ FROM part_home""", "part_home")
 cte("o_brg_section_program", f"""
 SELECT c.k_course_section, p.k_program, b.tenant_code
 FROM (SELECT tenant_code, {K('tenant_code', 'p_partkey', "'S1'")} AS k_course_section,
-             {K('tenant_code', "(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW', '6-UNKNOWN'])"
+             {K('tenant_code', 'home_school_id', "(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW', '6-UNKNOWN'])"
                 "[CAST(p_partkey % 6 AS INTEGER) + 1]")} AS k_program
       FROM part_home) b
 JOIN o_dim_course_section c ON b.k_course_section = c.k_course_section
@@ -1022,15 +999,6 @@ FROM (SELECT g0.tenant_code, g0.k_student, g0.school_year,
 LEFT JOIN xwalk_grade_levels x ON g.entry_grade_level = x.grade_level""",
     "o_stu_grade", "o_student_indicators", "xwalk_grade_levels")
 
-cte("o_dim_student_custom", """
-SELECT s.* REPLACE (g.entry_grade_level AS grade_level, g.grade_level_integer AS grade_level_integer),
-       (s.gender = 'Female' AND s.is_gifted) AS is_female_gifted, coalesce(i.has_iep, false) AS has_iep,
-       coalesce(g.grade_level_integer >= 3, false) AS is_upper_grade
-FROM o_dim_student s
-LEFT JOIN o_student_indicators i ON s.k_student = i.k_student
-LEFT JOIN o_stu_grade_custom g ON s.k_student = g.k_student AND s.school_year = g.school_year""",
-    "o_dim_student", "o_student_indicators", "o_stu_grade_custom")
-
 cte("o_dq_d19", """
 SELECT k_student, count(*) AS n_records FROM o_student_indicators GROUP BY 1 HAVING count(*) > 1""",
     "o_student_indicators")
@@ -1072,38 +1040,29 @@ FROM (SELECT a.*, x.network_type FROM (
 GROUP BY k_school, tenant_code""", "stg_schools", "o_dim_network")
 
 # ---------------------------------------------------------------- participation statuses, budgets
-cte("o_participation_status", """
-SELECT tenant_code, k_student_program, k_student, k_student_xyear, k_program, program_enroll_begin_date,
-       participation_status, program_enroll_begin_date AS status_begin_date,
-       program_enroll_end_date AS status_end_date, CAST(NULL AS VARCHAR) AS designated_by,
-       'stu_program' AS program_source
-FROM stg_prog_assoc
-UNION ALL
-SELECT tenant_code, k_student_program, k_student, k_student_xyear, k_program, program_enroll_begin_date,
-       'Eligible', program_enroll_begin_date, CAST(NULL AS DATE), 'Counselor', 'stu_homeless'
-FROM stg_prog_assoc WHERE program_name = '1-URGENT'""", "stg_prog_assoc")
-
 cte("o_fct_budgets", f"""
 SELECT s.*, a.k_school,
        row_number() OVER (PARTITION BY s.k_local_account
                           ORDER BY s.as_of_date DESC, s.k_local_budget_snapshot ASC) = 1 AS is_latest_snapshot
-FROM (SELECT tenant_code, {K('tenant_code', "'budget'", 'o_orderkey')} AS k_local_budget_snapshot,
+FROM (SELECT tenant_code, o_orderstatus AS budget_status, {K('tenant_code', "'budget'", 'o_orderkey')} AS k_local_budget_snapshot,
              {K('tenant_code', 'o_custkey')} AS k_local_account, o_totalprice AS amount, begin_date AS as_of_date,
              CAST(home_school_id AS VARCHAR) AS ed_org_id, o_orderpriority AS financial_collection,
              year(begin_date) AS fiscal_year, CAST(o_custkey AS VARCHAR) AS local_account_identifier
-      FROM orders_home WHERE o_orderstatus = 'O') s
+      FROM orders_home) s
 JOIN o_dim_local_account a ON s.k_local_account = a.k_local_account""", "orders_home", "o_dim_local_account")
 
 # ---------------------------------------------------------------- section attendance events
 cte("stg_section_events", f"""
 SELECT hu.tenant_code, 2024 AS school_year, {K('hu.tenant_code', 'e.user_id', '2024')} AS k_student,
-       {K('hp.tenant_code', 'e.event_id % (SELECT count(*) FROM part)', "'S1'")} AS k_course_section,
+       {K('hp.tenant_code', 'p.p_partkey', "'S1'")} AS k_course_section,
        CAST(e.ts AS DATE) AS attendance_event_date,
        CASE WHEN e.event_type = 'view' THEN 'Tardy' ELSE e.event_type END AS attendance_event_category,
        CAST(e.event_id AS VARCHAR) AS attendance_event_reason
 FROM events e
-JOIN home_school hu ON e.user_id % (SELECT count(*) FROM supplier) = hu.home_school_id
-JOIN home_school hp ON (e.event_id % (SELECT count(*) FROM part)) % (SELECT count(*) FROM supplier) = hp.home_school_id""", "home_school")
+JOIN home_school hu ON e.user_id % (SELECT count(*) FROM supplier) = hu.school_index
+JOIN (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS section_index FROM part) p
+  ON e.event_id % (SELECT count(*) FROM part) = p.section_index
+JOIN home_school hp ON p.p_partkey % (SELECT count(*) FROM supplier) = hp.school_index""", "home_school")
 
 cte("o_fct_section_events", """
 SELECT e.k_student, s.k_student_xyear, e.k_course_section, c.k_school, e.tenant_code, e.school_year,
@@ -1143,8 +1102,8 @@ FROM (SELECT {K('hp.tenant_code', 'l.l_partkey')} AS k_course,
              l.l_quantity / 10.0 AS earned_credits, l.l_returnflag AS final_letter_grade_earned
       FROM lineitem l
       JOIN orders o ON l.l_orderkey = o.o_orderkey
-      JOIN home_school hu ON o.o_custkey % (SELECT count(*) FROM supplier) = hu.home_school_id
-      JOIN home_school hp ON l.l_partkey % (SELECT count(*) FROM supplier) = hp.home_school_id) t
+      JOIN home_school hu ON o.o_custkey % (SELECT count(*) FROM supplier) = hu.school_index
+      JOIN home_school hp ON l.l_partkey % (SELECT count(*) FROM supplier) = hp.school_index) t
 JOIN o_fct_academic_record r ON t.k_student_academic_record = r.k_student_academic_record
 JOIN o_dim_course c ON t.k_course = c.k_course""", "home_school", "o_fct_academic_record", "o_dim_course")
 
@@ -1180,22 +1139,27 @@ LEFT JOIN (SELECT {K('r_name', "'esc'")} AS k_esc,
 
 # ---------------------------------------------------------------- objective assessments
 cte("o_dim_objective_assessment", f"""
-SELECT {K('a.tenant_code', "'ASMT'", 'a.assessment_identifier', 'c.code')} AS k_objective_assessment, a.k_assessment,
+SELECT {_asmt('a.', 'lower(c.code)', subjects=2)} AS k_objective_assessment, a.k_assessment,
        a.tenant_code, a.api_year AS school_year, a.assessment_identifier, a.namespace,
        c.code AS objective_assessment_identification_code, 'Objective ' || c.code AS objective_assessment_description,
-       a.academic_subject
-FROM stg_assessments a CROSS JOIN (VALUES ('OBJ-A'), ('OBJ-B')) c(code)""", "stg_assessments")
+       CASE c.code WHEN 'OBJ-A' THEN 100 ELSE 50 END AS max_raw_score, 'Strand' AS nomenclature,
+       CASE c.code WHEN 'OBJ-A' THEN 60 ELSE 40 END AS percent_of_assessment, a.academic_subject,
+       ['Mastery', 'Raw Score'] AS scores_array,
+       [{{'performance_level_name': 'Met', 'performance_level_value': '1'}},
+        {{'performance_level_name': 'Not Met', 'performance_level_value': '0'}}] AS performance_levels_array
+FROM (SELECT *, assessment_identifier AS o_orderpriority FROM stg_assessments) a
+CROSS JOIN (VALUES ('OBJ-A'), ('OBJ-B')) c(code)""", "stg_assessments")
 
 cte("stg_student_objective", f"""
-SELECT o.tenant_code, o.school_year, {K('o.tenant_code', 'o.o_orderkey', 'c.code')} AS k_student_objective_assessment,
-       {K('o.tenant_code', "'ASMT'", 'o.o_orderpriority', 'c.code')} AS k_objective_assessment,
-       {K('o.tenant_code', 'o.o_orderkey')} AS k_student_assessment,
-       {K('o.tenant_code', "'ASMT'", 'o.o_orderpriority')} AS k_assessment,
+SELECT o.tenant_code, 2024 AS api_year, o.school_year,
+       {_asmt('o.', 'lower(c.code)', 'CAST(o.o_orderkey AS VARCHAR)')} AS k_student_objective_assessment,
+       {_asmt('o.', 'lower(c.code)', subjects=2)} AS k_objective_assessment,
+       {_stu_asmt('o.')} AS k_student_assessment, {_asmt('o.')} AS k_assessment,
        {K('o.tenant_code', 'o.o_custkey', 'o.school_year')} AS k_student, {K('o.tenant_code', 'o.o_custkey')} AS k_student_xyear,
        o.o_orderpriority AS assessment_identifier, 'uri://rollcall.example/assessment' AS namespace,
        c.code AS objective_assessment_identification_code, o.begin_date AS administration_date,
-       o.o_totalprice, o.o_orderkey
-FROM orders_home o CROSS JOIN (VALUES ('OBJ-A'), ('OBJ-B')) c(code)""", "orders_home")
+       o.o_totalprice, o.o_orderkey, o.o_orderpriority
+FROM assessment_orders o CROSS JOIN (VALUES ('OBJ-A'), ('OBJ-B')) c(code)""", "assessment_orders")
 
 cte("o_obj_long", """
 WITH stacked AS (
@@ -1227,23 +1191,135 @@ LEFT JOIN (VALUES ('1-URGENT', 'uri://rollcall.example/assessment', 'OBJ-A', 'Ra
   ON d.assessment_identifier = x.i AND d.namespace = x.ns AND d.objective_assessment_identification_code = x.c
  AND d.score_name = x.s""", "stg_student_objective")
 
+cte("o_obj_scores", """
+SELECT k_student_objective_assessment,
+       max(CASE WHEN normalized_score_name = 'performance_level' THEN score_result END) AS performance_level,
+       max(CASE WHEN normalized_score_name = 'raw_score' THEN score_result END) AS raw_score,
+       array_to_string(list_sort(list(original_score_name || '=' || score_result)
+                                 FILTER (normalized_score_name = 'other')), ',') AS v_other_results
+FROM o_obj_long GROUP BY 1""", "o_obj_long")
+
 cte("o_fct_student_objective", """
 SELECT a.k_student_objective_assessment, a.k_objective_assessment, a.k_student_assessment, a.k_assessment,
        s.k_student, a.k_student_xyear, a.tenant_code, a.school_year, a.administration_date,
-       w.performance_level, w.raw_score, o.v_other_results
+       f.performance_level, f.raw_score, f.v_other_results
 FROM stg_student_objective a
 LEFT JOIN o_dim_student s ON a.k_student = s.k_student
-LEFT JOIN (SELECT k_student_objective_assessment,
-                  max(CASE WHEN normalized_score_name = 'performance_level' THEN score_result END) AS performance_level,
-                  max(CASE WHEN normalized_score_name = 'raw_score' THEN score_result END) AS raw_score
-           FROM o_obj_long WHERE normalized_score_name <> 'other' GROUP BY 1) w
-  ON a.k_student_objective_assessment = w.k_student_objective_assessment
-LEFT JOIN (SELECT k_student_objective_assessment,
-                  array_to_string(list_sort(list(original_score_name || '=' || score_result)), ',') AS v_other_results
-           FROM o_obj_long WHERE normalized_score_name = 'other' GROUP BY 1) o
-  ON a.k_student_objective_assessment = o.k_student_objective_assessment
+LEFT JOIN o_obj_scores f ON a.k_student_objective_assessment = f.k_student_objective_assessment
 WHERE a.k_student_xyear IN (SELECT k_student_xyear FROM o_dim_student)""",
-    "stg_student_objective", "o_dim_student", "o_obj_long")
+    "stg_student_objective", "o_dim_student", "o_obj_scores")
+
+# ---------------------------------------------------------------- copies across tenants (custom config)
+cte("o_active_students", """
+WITH p AS (
+  SELECT DISTINCT e.school_year, e.tenant_code, e.k_student, e.k_student_xyear, s.student_unique_id, s.birth_date,
+         s.first_name, s.last_name
+  FROM o_fct_enrollment e JOIN o_dim_student s ON e.k_student = s.k_student WHERE e.is_active_enrollment)
+SELECT school_year, tenant_code, k_student, k_student_xyear, student_unique_id FROM p
+WHERE student_unique_id IN (
+  SELECT student_unique_id FROM p GROUP BY 1
+  HAVING count(DISTINCT birth_date) <= 1
+      OR (count(DISTINCT birth_date) + count(DISTINCT lower(first_name)) + count(DISTINCT lower(last_name)) <= 5
+          AND count(DISTINCT tenant_code) > 1))""", "o_fct_enrollment", "o_dim_student")
+
+cte("o_asmt_copies", f"""
+SELECT * FROM (
+  SELECT DISTINCT a.tenant_code, a.school_year, a.api_year, a.k_student, a.k_student_xyear, a.k_assessment, a.k_student_assessment,
+         a.k_student_assessment AS k_student_assessment__original, a.k_assessment AS k_assessment__original,
+         a.student_unique_id, a.student_assessment_identifier, true AS is_original_record, a.tenant_code AS original_tenant_code
+  FROM stg_student_assessments a JOIN o_active_students e ON a.student_unique_id = e.student_unique_id
+  UNION ALL
+  SELECT e.tenant_code, a.school_year, a.api_year, e.k_student, e.k_student_xyear,
+         {K('e.tenant_code', 'a.api_year', "lower('Mathematics')", 'lower(a.assessment_identifier)', 'lower(a.namespace)')},
+         {K('e.tenant_code', 'a.api_year', "lower('Mathematics')", 'lower(a.assessment_identifier)', 'lower(a.namespace)',
+            'lower(a.student_assessment_identifier)', 'lower(a.student_unique_id)')},
+         a.k_student_assessment, a.k_assessment, a.student_unique_id, a.student_assessment_identifier, false, a.tenant_code
+  FROM stg_student_assessments a JOIN o_active_students e
+    ON a.student_unique_id = e.student_unique_id AND a.tenant_code <> e.tenant_code)
+QUALIFY row_number() OVER (PARTITION BY k_student_assessment
+                           ORDER BY is_original_record DESC, original_tenant_code, k_student_assessment__original) = 1""",
+    "stg_student_assessments", "o_active_students")
+
+cte("o_objective_copies", f"""
+SELECT {K('c.tenant_code', 'c.api_year', "lower('Mathematics')", 'lower(o.assessment_identifier)', 'lower(o.namespace)',
+          'lower(o.objective_assessment_identification_code)', 'lower(CAST(o.o_orderkey AS VARCHAR))')}
+         AS k_student_objective_assessment,
+       {K('c.tenant_code', 'c.api_year', "lower('Mathematics')", "lower('Mathematics')", 'lower(o.assessment_identifier)',
+          'lower(o.namespace)', 'lower(o.objective_assessment_identification_code)')} AS k_objective_assessment,
+       o.k_student_objective_assessment AS k_student_objective_assessment__original,
+       o.k_objective_assessment AS k_objective_assessment__original,
+       c.k_student_assessment, c.k_student_assessment__original, c.k_student, c.k_student_xyear, c.k_assessment,
+       c.k_assessment__original, c.tenant_code, c.school_year, c.api_year, c.is_original_record, c.original_tenant_code
+FROM stg_student_objective o JOIN o_asmt_copies c ON o.k_student_assessment = c.k_student_assessment__original
+QUALIFY row_number() OVER (PARTITION BY {K('c.tenant_code', 'c.api_year', "lower('Mathematics')", 'lower(o.assessment_identifier)',
+                                           'lower(o.namespace)', 'lower(o.objective_assessment_identification_code)',
+                                           'lower(CAST(o.o_orderkey AS VARCHAR))')}
+                           ORDER BY c.is_original_record DESC, c.original_tenant_code, o.k_student_objective_assessment) = 1""",
+    "stg_student_objective", "o_asmt_copies")
+
+cte("o_dim_assessment_copied", """
+SELECT coalesce(c.k_assessment, d.k_assessment) AS k_assessment, coalesce(c.tenant_code, d.tenant_code) AS tenant_code,
+       coalesce(c.school_year, d.school_year) AS school_year, d.* EXCLUDE (k_assessment, tenant_code, school_year)
+FROM o_dim_assessment d
+LEFT JOIN (SELECT * FROM o_asmt_copies
+           QUALIFY row_number() OVER (PARTITION BY k_assessment ORDER BY tenant_code, school_year, k_assessment__original) = 1) c
+  ON d.k_assessment = c.k_assessment__original
+QUALIFY row_number() OVER (PARTITION BY coalesce(c.k_assessment, d.k_assessment)
+                           ORDER BY coalesce(c.tenant_code, d.tenant_code), coalesce(c.school_year, d.school_year)) = 1""",
+    "o_dim_assessment", "o_asmt_copies")
+
+cte("o_dim_objective_copied", """
+SELECT coalesce(c.k_objective_assessment, d.k_objective_assessment) AS k_objective_assessment,
+       coalesce(c.k_assessment, d.k_assessment) AS k_assessment, coalesce(c.tenant_code, d.tenant_code) AS tenant_code,
+       coalesce(c.school_year, d.school_year) AS school_year,
+       d.* EXCLUDE (k_objective_assessment, k_assessment, tenant_code, school_year)
+FROM o_dim_objective_assessment d
+LEFT JOIN (SELECT * FROM o_objective_copies
+           QUALIFY row_number() OVER (PARTITION BY k_objective_assessment
+                                      ORDER BY tenant_code, school_year, k_objective_assessment__original) = 1) c
+  ON d.k_objective_assessment = c.k_objective_assessment__original
+QUALIFY row_number() OVER (PARTITION BY coalesce(c.k_objective_assessment, d.k_objective_assessment)
+                           ORDER BY coalesce(c.tenant_code, d.tenant_code), coalesce(c.school_year, d.school_year)) = 1""",
+    "o_dim_objective_assessment", "o_objective_copies")
+
+# the plain facts are the copied ones' originals, with what their scores are found by
+cte("o_fct_student_assessment_copied", """
+WITH a AS (
+  SELECT coalesce(c.k_student_assessment, s.k_student_assessment) AS k_student_assessment,
+         coalesce(c.k_assessment, s.k_assessment) AS k_assessment, coalesce(c.k_student, s.k_student) AS k_student,
+         coalesce(c.k_student_xyear, s.k_student_xyear) AS k_student_xyear, coalesce(c.tenant_code, s.tenant_code) AS tenant_code,
+         s.student_assessment_identifier, coalesce(c.school_year, s.school_year) AS school_year, s.administration_date,
+         s.when_assessed_grade_level, s.k_student_assessment AS k_student_assessment__original,
+         coalesce(c.is_original_record, true) AS is_original_record,
+         coalesce(c.original_tenant_code, s.tenant_code) AS original_tenant_code
+  FROM stg_student_assessments s LEFT JOIN o_asmt_copies c ON s.k_student_assessment = c.k_student_assessment__original)
+SELECT a.* REPLACE (d.k_student AS k_student), f.performance_level, f.raw_score, f.scale_score, f.v_other_results
+FROM a
+LEFT JOIN o_dim_student d ON a.k_student = d.k_student
+LEFT JOIN o_asmt_scores f ON a.k_student_assessment__original = f.k_student_assessment
+WHERE a.k_student_xyear IN (SELECT k_student_xyear FROM o_dim_student)""",
+    "stg_student_assessments", "o_asmt_copies", "o_dim_student", "o_asmt_scores")
+
+cte("o_fct_student_objective_copied", """
+WITH a AS (
+  SELECT coalesce(c.k_student_objective_assessment, s.k_student_objective_assessment) AS k_student_objective_assessment,
+         coalesce(c.k_objective_assessment, s.k_objective_assessment) AS k_objective_assessment,
+         coalesce(c.k_student_assessment, s.k_student_assessment) AS k_student_assessment,
+         coalesce(c.k_assessment, s.k_assessment) AS k_assessment, coalesce(c.k_student, s.k_student) AS k_student,
+         coalesce(c.k_student_xyear, s.k_student_xyear) AS k_student_xyear, coalesce(c.tenant_code, s.tenant_code) AS tenant_code,
+         coalesce(c.school_year, s.school_year) AS school_year, s.administration_date,
+         s.k_student_objective_assessment AS k_student_objective_assessment__original,
+         coalesce(c.is_original_record, true) AS is_original_record,
+         coalesce(c.original_tenant_code, s.tenant_code) AS original_tenant_code
+  FROM stg_student_objective s
+  LEFT JOIN o_objective_copies c ON s.k_student_objective_assessment = c.k_student_objective_assessment__original)
+SELECT a.* REPLACE (d.k_student AS k_student), f.performance_level, f.raw_score, f.v_other_results
+FROM a
+LEFT JOIN o_dim_student d ON a.k_student = d.k_student
+LEFT JOIN o_obj_scores f ON a.k_student_objective_assessment__original = f.k_student_objective_assessment
+WHERE a.k_student_xyear IN (SELECT k_student_xyear FROM o_dim_student)
+QUALIFY row_number() OVER (PARTITION BY a.k_student_objective_assessment ORDER BY a.is_original_record DESC, a.school_year DESC) = 1""",
+    "stg_student_objective", "o_objective_copies", "o_dim_student", "o_obj_scores")
 
 cte("o_dq_d9", """
 SELECT DISTINCT f.tenant_code, f.school_year, d.assessment_identifier, d.objective_assessment_identification_code
@@ -1296,13 +1372,6 @@ QUALIFY row_number() OVER (PARTITION BY a.k_student, a.k_discipline_actions_even
                                     l.incident_id ASC NULLS LAST) = 1""",
     "stg_discipline_actions", "o_fct_incident_behaviors", "o_fct_discipline_actions")
 
-cte("o_program_cte", _program_flags("cte", ("1-URGENT", "2-HIGH"), ""), "stg_prog_assoc")
-cte("o_program_food_service", _program_flags(
-    "food_service", ("5-LOW",), ", max(participation_status) AS participation_status"), "stg_prog_assoc")
-cte("o_program_language_instruction", _program_flags("language_instruction", ("3-MEDIUM",), ""), "stg_prog_assoc")
-cte("o_program_migrant_education", _program_flags("migrant_education", ("4-NOT SPECIFIED", "5-LOW"), ""),
-    "stg_prog_assoc")
-
 cte("o_wide_ids_student", f"""
 SELECT tenant_code, 2024 AS api_year, {K('tenant_code', 'c_custkey', '2024')} AS k_student,
        {K('tenant_code', 'c_custkey')} AS k_student_xyear, CAST(home_school_id AS VARCHAR) AS ed_org_id,
@@ -1320,89 +1389,6 @@ SELECT {K('tenant_code', 'staff_unique_id')} AS k_staff,
        CASE WHEN c_custkey % 9 = 0 THEN 'Latinx' WHEN c_custkey % 3 = 0 THEN 'Multiple'
             ELSE 'Black - African American' END AS race_ethnicity
 FROM staff_home WHERE c_custkey % 3 IN (0, 1)""", "staff_home")
-cte("o_program_special_education", _program_flags(
-    "special_education", ("__none__",), ", bool_or(is_served_outside_regular_session) AS is_served_outside_regular_session"),
-    "stg_prog_assoc")
-
-# ---------------------------------------------------------------- program-specific facts
-cte("o_fct_homeless_program", f"""
-SELECT s.* FROM (
-  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
-         {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
-         {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
-         {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
-         CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
-         o_orderpriority AS program_name, CASE WHEN o_orderkey % 2 = 0 THEN 'Shelters' ELSE 'Doubled-up' END AS homeless_primary_nighttime_residence
-  FROM orders_home WHERE o_orderpriority = '1-URGENT') s
-JOIN o_dim_student d ON s.k_student = d.k_student
-JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
-cte("o_fct_language_instruction_program", f"""
-SELECT s.* FROM (
-  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
-         {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
-         {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
-         {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
-         CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
-         o_orderpriority AS program_name, o_orderkey % 3 = 0 AS has_english_learner_participation
-  FROM orders_home WHERE o_orderpriority = '2-HIGH') s
-JOIN o_dim_student d ON s.k_student = d.k_student
-JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
-cte("o_fct_special_education_program", f"""
-SELECT s.* FROM (
-  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
-         {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
-         {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
-         {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
-         CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
-         o_orderpriority AS program_name, 'Inside regular class' AS special_education_setting
-  FROM orders_home WHERE o_orderpriority = '3-MEDIUM') s
-JOIN o_dim_student d ON s.k_student = d.k_student
-JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
-cte("o_fct_title_i_part_a_program", f"""
-SELECT s.* FROM (
-  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
-         {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
-         {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
-         {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
-         CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
-         o_orderpriority AS program_name, 'Targeted' AS title_i_part_a_participant_status
-  FROM orders_home WHERE o_orderpriority = '4-NOT SPECIFIED') s
-JOIN o_dim_student d ON s.k_student = d.k_student
-JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
-cte("o_fct_cte_program", f"""
-SELECT s.* FROM (
-  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
-         {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
-         {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
-         {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
-         CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
-         o_orderpriority AS program_name, 'Passed' AS technical_skills_assessment
-  FROM orders_home WHERE o_orderpriority = '5-LOW') s
-JOIN o_dim_student d ON s.k_student = d.k_student
-JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
-cte("o_fct_school_food_service_program", f"""
-SELECT s.* FROM (
-  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
-         {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
-         {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
-         {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
-         CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
-         o_orderpriority AS program_name, 'Yes' AS direct_certification
-  FROM orders_home WHERE o_orderstatus = 'F') s
-JOIN o_dim_student d ON s.k_student = d.k_student
-JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
-cte("o_fct_migrant_education_program", f"""
-SELECT s.* FROM (
-  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'school_year')} AS k_student,
-         {K('tenant_code', 'o_custkey')} AS k_student_xyear, {K('tenant_code', 'o_orderpriority')} AS k_program,
-         {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
-         {K('tenant_code', 'home_school_id')} AS k_school, begin_date AS program_enroll_begin_date,
-         CASE WHEN o_orderstatus = 'F' THEN begin_date + 90 END AS program_enroll_end_date,
-         o_orderpriority AS program_name, o_orderkey % 2 = 0 AS priority_for_service
-  FROM orders_home WHERE o_orderstatus = 'P') s
-JOIN o_dim_student d ON s.k_student = d.k_student
-JOIN o_dim_program p ON s.k_program = p.k_program""", "orders_home", "o_dim_student", "o_dim_program")
-
 cte("o_incident_summary", """
 WITH link AS (
   SELECT k_student, k_student_xyear, discipline_action_id, discipline_date, incident_id, school_id,
@@ -1490,16 +1476,16 @@ FROM (SELECT DISTINCT tenant_code, p_type FROM part_home) t""", "part_home")
 cte("o_fct_ls_grades", f"""
 SELECT g.* FROM (
   SELECT hs.tenant_code, {K('hs.tenant_code', 'o.o_custkey', '2024')} AS k_student,
-         {K('hs.tenant_code', 'o.o_custkey % (SELECT count(*) FROM supplier)')} AS k_school,
+         {K('hs.tenant_code', 'hs.home_school_id')} AS k_school,
          {K('hp.tenant_code', 'l.l_partkey', "'S1'")} AS k_course_section,
-         {K('hs.tenant_code', 'o.o_custkey % (SELECT count(*) FROM supplier)', '2024',
+         {K('hs.tenant_code', 'hs.home_school_id', '2024',
             "CASE WHEN l.l_linenumber % 2 = 0 THEN 'Third Quarter' ELSE 'Fourth Quarter' END")} AS k_grading_period,
          {K('hp.tenant_code', "'LS'", 'p.p_type')} AS k_learning_standard,
          CASE WHEN l.l_linestatus = 'F' THEN 'Final' ELSE 'Grading Period' END AS grade_type,
          l.l_returnflag AS learning_standard_letter_grade_earned
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
-  JOIN home_school hs ON o.o_custkey % (SELECT count(*) FROM supplier) = hs.home_school_id
-  JOIN home_school hp ON l.l_partkey % (SELECT count(*) FROM supplier) = hp.home_school_id) g
+  JOIN home_school hs ON o.o_custkey % (SELECT count(*) FROM supplier) = hs.school_index
+  JOIN home_school hp ON l.l_partkey % (SELECT count(*) FROM supplier) = hp.school_index) g
 JOIN o_dim_student s ON g.k_student = s.k_student
 JOIN o_dim_school sc ON g.k_school = sc.k_school
 JOIN o_dim_course_section c ON g.k_course_section = c.k_course_section
@@ -1510,7 +1496,7 @@ JOIN o_dim_learning_standard ls ON g.k_learning_standard = ls.k_learning_standar
 
 cte("o_cohort_years", f"""
 SELECT tenant_code, 2024 AS api_year, {K('tenant_code', 'c_custkey', '2024')} AS k_student,
-       list_sort(list({{'cohort_type': t, 'school_year': y, 'term': m}})) AS cohort_years_array
+       list_sort(list({{'cohort_year_type': t, 'school_year': y, 'academic_term': m}})) AS cohort_year_array
 FROM (SELECT tenant_code, c_custkey, 'Ninth grade' AS t, CAST(2027 + c_custkey % 3 AS INTEGER) AS y, 'Fall' AS m
       FROM customer_home
       UNION ALL
@@ -1518,16 +1504,6 @@ FROM (SELECT tenant_code, c_custkey, 'Ninth grade' AS t, CAST(2027 + c_custkey %
       WHERE c_custkey % 2 = 0) u
 GROUP BY 1, 2, 3""", "customer_home")
 
-cte("o_primary_disability", f"""
-SELECT * FROM (
-  SELECT tenant_code, school_year, {K('tenant_code', 'o_custkey', 'o_orderkey')} AS k_student_program,
-         {K('tenant_code', 'o_custkey', 'school_year')} AS k_student, {K('tenant_code', 'o_orderpriority')} AS k_program,
-         d.t AS primary_disability_type
-  FROM orders_home JOIN (VALUES ('Autism', 1, 1), ('Another Disability', 5, 1)) d(t, m, o) ON o_orderkey % d.m = 0
-  WHERE o_orderpriority = '3-MEDIUM') x
-QUALIFY row_number() OVER (PARTITION BY k_student_program ORDER BY primary_disability_type ASC NULLS LAST) = 1""",
-    "orders_home")
-
 cte("o_wide_ids_lea", f"""
 SELECT n.tenant_code, 2024 AS api_year, {K('n.tenant_code', 'n.n_nationkey')} AS k_lea,
        CAST(NULL AS VARCHAR) AS local_lea_code, 'N' || CAST(n.n_nationkey AS VARCHAR) AS nces_lea_code,
@@ -1536,24 +1512,19 @@ FROM nation_tenant n JOIN o_dim_lea l ON {K('n.tenant_code', 'n.n_nationkey')} =
     "nation_tenant", "o_dim_lea")
 
 cte("o_objective_scores", f"""
-SELECT a.tenant_code, a.api_year, {K('a.tenant_code', "'ASMT'", 'a.assessment_identifier', 'c.code')} AS k_objective_assessment,
+SELECT a.tenant_code, a.api_year, {_asmt('a.', 'lower(c.code)', subjects=2)} AS k_objective_assessment,
        ['Mastery', 'Raw Score'] AS scores_array
-FROM stg_assessments a CROSS JOIN (VALUES ('OBJ-A'), ('OBJ-B')) c(code)""", "stg_assessments")
+FROM (SELECT *, assessment_identifier AS o_orderpriority FROM stg_assessments) a
+CROSS JOIN (VALUES ('OBJ-A'), ('OBJ-B')) c(code)""", "stg_assessments")
 
 cte("o_objective_pls", f"""
-SELECT a.tenant_code, a.api_year, {K('a.tenant_code', "'ASMT'", 'a.assessment_identifier', 'c.code')} AS k_objective_assessment,
+SELECT a.tenant_code, a.api_year, {_asmt('a.', 'lower(c.code)', subjects=2)} AS k_objective_assessment,
        list_sort([{{'performance_level_name': 'Met', 'performance_level_value': '1'}},
                   {{'performance_level_name': 'Not Met', 'performance_level_value': '0'}}]) AS performance_levels_array
-FROM stg_assessments a CROSS JOIN (VALUES ('OBJ-A'), ('OBJ-B')) c(code)""", "stg_assessments")
+FROM (SELECT *, assessment_identifier AS o_orderpriority FROM stg_assessments) a
+CROSS JOIN (VALUES ('OBJ-A'), ('OBJ-B')) c(code)""", "stg_assessments")
 
 # ---------------------------------------------------------------- builds registered on their own
-cte("o_immutable_stu_demos", """
-SELECT k_student, k_student_xyear, first_name, middle_name, last_name, birth_date,
-       last_name || ', ' || first_name || coalesce(' ' || left(middle_name, 1), '') AS display_name,
-       last_name || ', ' || first_name || coalesce(' ' || left(middle_name, 1), '') || ' (' || student_unique_id || ')'
-         AS safe_display_name
-FROM stg_students""", "stg_students")
-
 cte("o_assessment_scores", """
 SELECT tenant_code, api_year, k_assessment, ['Percentile', 'Raw Score', 'Scale Score'] AS scores_array
 FROM stg_assessments""", "stg_assessments")

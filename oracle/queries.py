@@ -14,7 +14,8 @@ final("ds_dim_calendar_date", "o_dim_calendar_date",
       lists=("calendar_events_array",))
 final("ds_school_calendar_windows", "o_school_calendar_windows", bigint=("school_year",))
 final("ds_dim_session", "o_dim_session", bigint=("school_year", "total_instructional_days"))
-final("ds_dim_student", "o_dim_student", bigint=("school_year", "grade_level_integer"), lists=("race_array",))
+final("ds_dim_student", "o_dim_student", bigint=("school_year", "grade_level_integer", "reading_level"), lists=("race_array",),
+      json_lists=("cohort_year_array",))
 final("ds_fct_student_school_association", "o_fct_enrollment", bigint=("school_year", "grade_level_integer"))
 final("ds_fct_student_school_attendance_event", "o_fct_att_event", bigint=("school_year",), double=("is_absent",))
 final("ds_attendance_sessions", "o_attendance_sessions", bigint=("total_instructional_days",))
@@ -27,12 +28,9 @@ final("ds_msr_student_cumulative_attendance", "o_msr_cum",
       double=("days_absent", "days_attended", "days_enrolled", "attendance_rate"))
 final("ds_dim_subgroup", "o_dim_subgroup")
 final("ds_fct_student_subgroup", "o_fct_student_subgroup", bigint=("school_year",))
-final("ds_dim_program", "o_dim_program")
+final("ds_dim_program", "o_dim_program", bigint=("school_year",))
 final("ds_fct_student_program_association", "o_fct_program_assoc", bigint=("school_year",))
 final("ds_student_programs", "o_student_programs")
-final("ds_student_program__homeless", "o_program_homeless")
-final("ds_student_program__title_i_part_a", "o_program_title_i")
-final("ds_student_program__program_services", "o_program_services", lists=("program_services",))
 final("ds_fct_student_program_service", "o_fct_program_service")
 final("ds_dim_local_account", "o_dim_local_account", bigint=("fiscal_year",))
 final("ds_fct_local_actual_snapshots", "o_fct_actuals", bigint=("fiscal_year",))
@@ -123,8 +121,8 @@ final("ds_fct_candidate_educator_preparation_program_association", "o_fct_candid
 final("ds_dim_certification_exam", "o_dim_cert_exam", bigint=("school_year",))
 final("ds_fct_certification_exam_result", "o_fct_cert_result", bigint=("school_year", "attempt_number"))
 final("ds_fct_candidate_staff_association", "o_fct_candidate_staff", bigint=("api_year",))
-final("ds_dim_student_custom", "o_dim_student_custom", bigint=("school_year", "grade_level_integer"),
-      lists=("race_array",))
+final("ds_dim_student_custom", "o_dim_student_custom", bigint=("school_year", "grade_level_integer", "reading_level"),
+      lists=("race_array",), json_lists=("cohort_year_array",))
 final("ds_dim_school_custom", "o_dim_school_custom", bigint=("api_year",))
 final("dq_d17_custom_student_sources_unique", "o_dq_d17")
 final("ds_dim_network", "o_dim_network")
@@ -138,24 +136,38 @@ final("dq_d2_assessments_without_score_mapping", "o_dq_d2", bigint=("school_year
 final("ds_fct_course_transcripts", "o_fct_transcripts", bigint=("school_year",))
 final("ds_dim_chart_of_account", "o_dim_chart_of_account", bigint=("fiscal_year",))
 final("ds_dim_esc", "o_dim_esc")
-final("ds_dim_objective_assessment", "o_dim_objective_assessment", bigint=("school_year",))
+final("ds_dim_objective_assessment", "o_dim_objective_assessment",
+      bigint=("school_year", "max_raw_score", "percent_of_assessment"), lists=("scores_array",),
+      json_lists=("performance_levels_array",))
+final("ds_student_assessment_cross_tenant_custom", "o_asmt_copies", bigint=("school_year", "api_year"))
+final("ds_student_objective_assessment_cross_tenant_custom", "o_objective_copies", bigint=("school_year", "api_year"))
+final("ds_dim_assessment_custom", "o_dim_assessment_copied", bigint=("school_year",),
+      lists=("scores_array", "grades_array"), json_lists=("performance_levels_array",))
+final("ds_dim_objective_assessment_custom", "o_dim_objective_copied",
+      bigint=("school_year", "max_raw_score", "percent_of_assessment"), lists=("scores_array",),
+      json_lists=("performance_levels_array",))
+final("ds_fct_student_assessment_custom", "o_fct_student_assessment_copied", bigint=("school_year",))
+final("ds_fct_student_objective_assessment_custom", "o_fct_student_objective_copied", bigint=("school_year",))
 final("ds_student_objective_assessments_long_results", "o_obj_long")
 final("ds_fct_student_objective_assessment", "o_fct_student_objective", bigint=("school_year",))
 final("dq_d9_objective_assessments_without_score_mapping", "o_dq_d9", bigint=("school_year",))
 final("ds_fct_student_discipline_actions_summary", "o_actions_summary", bigint=("school_year",),
       lists=("behavior_types_array", "incident_id_array", "discipline_actions_array"))
-final("ds_student_program__cte", "o_program_cte")
-final("ds_student_program__food_service", "o_program_food_service")
-final("ds_student_program__language_instruction", "o_program_language_instruction")
-final("ds_student_program__migrant_education", "o_program_migrant_education")
 final("ds_wide_ids_student", "o_wide_ids_student", bigint=("api_year",))
 final("ds_wide_ids_staff", "o_wide_ids_staff", bigint=("api_year",))
 final("ds_staff_race_ethnicity", "o_staff_race", lists=("race_array",))
-final("ds_student_program__special_education", "o_program_special_education")
 
+for _build in ("special_education", "language_instruction", "homeless", "title_i_part_a", "cte", "food_services", "migrant_education"):
+    final(f"ds_student_program__{_build}", f"o_program_{_build}")
+    final(f"ds_student_program__{_build}__program_services", f"o_services_{_build}", bigint=("api_year",), lists=("program_services",))
+final("ds_student_program__food_service", "o_program_food_services")
+final("ds_student_program__program_services", "o_services_generic", bigint=("api_year",), lists=("program_services",))
+final("ds_student_program__homeless_custom", "o_program_homeless_custom")
+final("ds_student_program__title_i_part_a_custom", "o_program_title_i_part_a_custom")
 final("ds_fct_student_homeless_program_association", "o_fct_homeless_program", bigint=("school_year",))
 final("ds_fct_student_language_instruction_program_association", "o_fct_language_instruction_program", bigint=("school_year",))
-final("ds_fct_student_special_education_program_association", "o_fct_special_education_program", bigint=("school_year",))
+final("ds_fct_student_special_education_program_association", "o_fct_special_education_program", bigint=("school_year",),
+      lists=("special_education_program_services",))
 final("ds_fct_student_title_i_part_a_program_association", "o_fct_title_i_part_a_program", bigint=("school_year",))
 final("ds_fct_student_cte_program_association", "o_fct_cte_program", bigint=("school_year",))
 final("ds_fct_student_school_food_service_program_association", "o_fct_school_food_service_program", bigint=("school_year",))
@@ -167,8 +179,8 @@ final("ds_dim_classroom", "o_dim_classroom", bigint=("maximum_seating",))
 final("ds_dim_graduation_plan", "o_dim_graduation_plan", bigint=("school_year", "total_required_credits"))
 final("ds_dim_learning_standard", "o_dim_learning_standard")
 final("ds_fct_student_learning_standard_grades", "o_fct_ls_grades")
-final("ds_student_cohort_years", "o_cohort_years", bigint=("api_year",), json_lists=("cohort_years_array",))
-final("ds_student_program__special_education__primary_disability", "o_primary_disability", bigint=("school_year",))
+final("ds_student_cohort_years", "o_cohort_years", bigint=("api_year",), json_lists=("cohort_year_array",))
+final("ds_student_program__special_education__primary_disability", "o_primary_disability", bigint=("school_year", "order_of_disability"))
 final("ds_wide_ids_lea", "o_wide_ids_lea", bigint=("api_year",))
 final("ds_objective_assessment_scores", "o_objective_scores", bigint=("api_year",), lists=("scores_array",))
 final("ds_objective_assessment_performance_levels", "o_objective_pls", bigint=("api_year",),
@@ -177,7 +189,7 @@ final("ds_choose_stu_demos", "o_choose_stu_demos", bigint=("api_year",))
 final("ds_stu_race_ethnicity", "o_stu_race", lists=("race_array",))
 final("ds_stu_grade_level", "o_stu_grade", bigint=("school_year", "grade_level_integer"))
 final("ds_student_characteristics", "o_stu_chars", bigint=("api_year",))
-final("ds_immutable_stu_demos", "o_immutable_stu_demos")
+final("ds_immutable_stu_demos", "o_immutable_stu_demos", bigint=("school_year",), lists=("race_array",))
 final("ds_parent_wide_phone_numbers", "o_parent_wide_phones")
 final("ds_staff_emails", "o_staff_emails")
 final("ds_assessment_scores", "o_assessment_scores", bigint=("api_year",), lists=("scores_array",))

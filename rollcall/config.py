@@ -8,7 +8,7 @@ results are repeatable.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -19,15 +19,32 @@ from pyspark.sql import functions as F
 class ProgramSpec:
     """Per-program settings (seven program domains share one builder)."""
 
-    name: str
-    source: str
+    domain: str  # its switch in ``Config.domains``
+    stage: str  # its key in the staging of programs
+    flag: str  # flags are named is_{flag}_{agg_type}
+    attributes: tuple[str, ...]  # stage columns taken as the maximum over a student's enrollments
     begin_column: str = "program_enroll_begin_date"
     exit_column: str = "program_enroll_end_date"
     excluded_program_names: tuple[str, ...] = ()
-    agg_types: tuple[str, ...] = ("annual", "active")
-    custom_aggregates: tuple[tuple[str, str], ...] = ()  # (name, SQL aggregate expression)
-    flag_prefix: str | None = None
-    attribute_columns: tuple[str, ...] = ()
+    agg_types: tuple[str, ...] = ("annual", "active")  # those that dim_student takes
+    custom_aggregates: tuple[tuple[str, str], ...] = ()  # (boolean column, SQL aggregate expression)
+
+
+# fixed values: program domains, with what their flags are called and the attributes kept
+PROGRAMS = {
+    "special_education": ProgramSpec("special_ed", "special_education", "special_education",
+                                     ("is_idea_eligible", "is_multiply_disabled")),
+    "language_instruction": ProgramSpec("language_instruction", "language_instruction", "english_language_learner",
+                                        ("has_english_learner_participation",)),
+    "homeless": ProgramSpec("homeless", "homeless", "homeless", (
+        "is_awaiting_foster_care", "is_homeless_unaccompanied_youth", "homeless_primary_nighttime_residence")),
+    "title_i_part_a": ProgramSpec("title_i", "title_i_part_a", "title_i", ("title_i_part_a_participant_status",)),
+    "cte": ProgramSpec("cte", "cte", "cte", ("non_traditional_gender_status", "private_cte_program")),
+    "food_services": ProgramSpec("food_service", "food_service", "food_service",
+                                 ("direct_certification", "served_outside_of_regular_session")),
+    "migrant_education": ProgramSpec("migrant_education", "migrant_education", "migrant_education",
+                                     ("priority_for_service", "continuation_of_services_reason")),
+}
 
 
 @dataclass(frozen=True)
@@ -69,7 +86,19 @@ class Config:
     official_email_types: tuple[str, ...] = ("Work",)
     banned_email_domains: tuple[str, ...] = ("gmail.com", "yahoo.com", "hotmail.com")
 
-    # domain switches
+    # assessments: copy results to all tenants a student is enrolled in; a relation with the k_student of
+    # students left out of it (then the identity guard is off)
+    cross_tenant_assessments: bool = False
+    removed_students_source: str | None = None
+
+    # programs: domain build -> changed settings of its ProgramSpec
+    programs: dict = field(default_factory=dict)
+
+    # other-name types that become columns of students and of candidates
+    other_name_types: tuple[str, ...] = ("Alias", "Previous Legal Name")
+    candidate_name_types: tuple[str, ...] = ("Alias",)
+
+    # domain switches: a domain left out is neither read nor a column of any dataset
     domains: tuple[str, ...] = (
         "assessment", "cohort", "discipline", "esc", "homeless", "language_instruction",
         "special_ed", "title_i", "cte", "food_service", "migrant_education",
@@ -89,6 +118,12 @@ class Config:
     def enabled(self, domain: str) -> bool:
         return domain in self.domains
 
+    def program(self, build: str) -> ProgramSpec:
+        return replace(PROGRAMS[build], **self.programs.get(build, {}))
+
+    def enabled_programs(self) -> dict[str, ProgramSpec]:
+        return {build: self.program(build) for build, spec in PROGRAMS.items() if self.enabled(spec.domain)}
+
     @property
     def first_day_inclusive(self) -> bool:
         if self.first_day_exit_date_inclusive is None:
@@ -106,12 +141,18 @@ CUSTOM_CONFIG = Config(
     as_of=_dt.date(2024, 1, 30),
     intersection_groups=(("is_female_gifted", "gender = 'Female' AND is_gifted"),),
     custom_columns={
-        "dim_student": (("bld_student_indicators", "has_iep", "coalesce(bld_student_indicators.has_iep, false)"),
+        "dim_student": (("bld_student_indicators", "iep_on_file", "coalesce(bld_student_indicators.has_iep, false)"),
                         (None, "is_upper_grade", "coalesce(grade_level_integer >= 3, false)")),
         "dim_school": ((None, "is_elementary", "school_category = 'Elementary School'"),),
         "dim_course_section": (("bld_course_char__combined_wide", "is_honors_section",
                                 "coalesce(bld_course_char__combined_wide.is_honors, false)"),),
     },
     extensions={"stg_ef3__schools": ("api_year",)},
+    cross_tenant_assessments=True,
+    domains=("assessment", "cohort", "discipline", "esc", "homeless", "language_instruction", "special_ed", "title_i", "cte",
+             "migrant_education"),
+    programs={"homeless": {"excluded_program_names": ("1-URGENT",), "agg_types": ("annual", "active", "ever")},
+              "title_i_part_a": {"custom_aggregates": (("has_open_title_i", "max(program_enroll_end_date IS NULL)"),)}},
+    other_name_types=("Alias",),
     grade_level_override=("bld_student_indicators", "CASE WHEN reading_level >= 4 THEN 'Fourth grade' END"),
 )

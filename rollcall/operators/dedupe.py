@@ -1,10 +1,11 @@
 """Deterministic dedupe (R1), preferred-row pluck (R2) and first-row flags.
 
-All three are a ``row_number`` over a window.  Catalyst turns a
-``row_number() = 1`` filter into a ``WindowGroupLimit`` that keeps one row
-per partition key before the sort, so the shuffle carries whole rows but the
-sort buffer stays at one row per key.  Partitions are the dataset grain
-(a student-day, a record), never a tenant, so no group is unbounded.
+``first_by`` keeps the first row of each key as a mergeable aggregate: rows are
+combined before the shuffle, so a key that holds a third of all rows sends one
+row per task.  ``deduplicate`` is the window form (``row_number() = 1``): whole
+rows are shuffled and sorted by key and order; Catalyst puts a
+``WindowGroupLimit`` on both sides of the exchange, after a sort of its input.
+Use it where keys are the dataset grain and rows of one key are few.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _RN = "__rc_rn"
 
@@ -33,6 +35,45 @@ def deduplicate(df: DataFrame, partition_by: Sequence, order_by: Sequence) -> Da
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
+def first_by(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[tuple[str, str]]) -> DataFrame:
+    """R1 as an aggregate: the first row per ``partition_by`` under ``order_by``,
+    pairs like ``("entry_date", "desc nulls first")``, found by ``min_by`` over a
+    struct of the encoded sort keys.
+
+    A sort key becomes two fields: whether it is null, placed as asked, and its
+    value.  Values of the other direction are turned, which numbers, dates,
+    timestamps and booleans can be; text can't, so text keys must all ascend or
+    all descend (then the greatest is taken instead of the least).
+    """
+    text = {how.startswith("desc") for name, how in order_by if isinstance(df.schema[name].dataType, T.StringType)}
+    if len(text) > 1:
+        raise ValueError("first_by: text keys sort in both directions; use deduplicate")
+    greatest = text == {True}
+    parts = []
+    for i, (name, how) in enumerate(order_by):
+        null = F.col(name).isNull()
+        parts.append((null if how.endswith("first") == greatest else ~null).alias(f"n{i}"))
+        value = F.col(name) if how.startswith("desc") == greatest else _turned(F.col(name), df.schema[name].dataType)
+        parts.append(value.alias(f"v{i}"))
+    rest = [c for c in df.columns if c not in partition_by]
+    pick = (F.max_by if greatest else F.min_by)(F.struct(*rest), F.struct(*parts))
+    best = df.groupBy(*partition_by).agg(pick.alias("__rc_row"))
+    return best.select(*[F.col(c) if c in partition_by else F.col(f"__rc_row.`{c}`").alias(c) for c in df.columns])
+
+
+def _turned(c: Column, t: T.DataType) -> Column:
+    """A value that sorts the other way round."""
+    if isinstance(t, T.BooleanType):
+        return ~c
+    if isinstance(t, T.DateType):
+        return -F.unix_date(c)
+    if isinstance(t, T.TimestampType):
+        return -F.unix_micros(c)
+    if isinstance(t, T.NumericType):
+        return -c
+    raise ValueError(f"first_by can't turn {t.simpleString()}")
+
+
 def flag_first(df: DataFrame, name: str, partition_by: Sequence, order_by: Sequence) -> DataFrame:
     """Boolean column, True on the first row of each partition."""
     w = Window.partitionBy(*_cols(partition_by)).orderBy(*_cols(order_by))

@@ -5,17 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import deduplicate
+from ..operators.dedupe import first_by
 from ..operators.joins import seed
-from ..operators.reshape import crosswalk_values, pivot_values
-from ..operators.sets import map_agg, sorted_array, sorted_struct_array
+from ..operators.reshape import crosswalk_values
+from ..operators.sets import sorted_array, sorted_struct_array
+from .cross_tenant import dimension_with_copies, with_copies
 from .registry import dataset
 
-_CROSS_TENANT_SCHEMA = ("k_student_assessment string, k_student_assessment__original string, k_assessment string, "
-                        "k_student string, k_student_xyear string, tenant_code string, school_year int, "
-                        "is_original_record boolean, original_tenant_code string")
-
-
 @dataset("bld_assessment_scores", grain=("k_assessment",), domain="assessment")
 def assessment_scores(wh) -> DataFrame:
     """Score names per assessment."""
@@ -39,13 +35,6 @@ def assessment_grade_levels(wh) -> DataFrame:
             .agg(sorted_array("grade_level").alias("grades_array")))
 
 
-@dataset("bld_student_assessment_cross_tenant", grain=("k_student_assessment",), domain="assessment")
-def student_assessment_cross_tenant(wh) -> DataFrame:
-    """Cross-tenant copies are off unless configured, so this is a typed
-    empty relation that downstream left joins treat as 'no copies'."""
-    return wh.spark.createDataFrame([], _CROSS_TENANT_SCHEMA)
-
-
 @dataset("dim_assessment", grain=("k_assessment",), domain="assessment")
 def dim_assessment(wh) -> DataFrame:
     """Assessment metadata with score, level and grade arrays (J2), one row per key."""
@@ -54,8 +43,9 @@ def dim_assessment(wh) -> DataFrame:
          .join(wh("bld_assessment_performance_levels").select("k_assessment", "performance_levels_array"),
                "k_assessment", "left")
          .join(wh("bld_assessment_grade_levels").select("k_assessment", "grades_array"), "k_assessment", "left"))
-    j = j.withColumn("school_year", F.col("api_year"))
-    j = deduplicate(j, ["k_assessment"], [F.col("tenant_code").asc_nulls_last(), F.col("school_year").asc_nulls_last()])
+    j = dimension_with_copies(wh, j.withColumn("school_year", F.col("api_year")), "bld_student_assessment_cross_tenant",
+                              "k_assessment", ["k_assessment", "tenant_code", "school_year"])
+    j = first_by(j, ["k_assessment"], [("tenant_code", "asc nulls last"), ("school_year", "asc nulls last")])
     return j.select("k_assessment", "tenant_code", "school_year", "assessment_identifier", "namespace",
                     "assessment_title", "academic_subject", "assessment_family", "scores_array",
                     "performance_levels_array", "grades_array")
@@ -75,7 +65,7 @@ def student_assessments_long_results(wh) -> DataFrame:
         *cols[:6], F.col("performance_level_name").alias("score_name"),
         F.col("performance_level_result").alias("score_result"))
     stacked = sr.unionByName(pl)
-    d = deduplicate(stacked, ["k_student_assessment", "score_name"], [F.col("score_result").desc_nulls_first()])
+    d = first_by(stacked, ["k_student_assessment", "score_name"], [("score_result", "desc nulls first")])
     fam = wh("dim_assessment").select("k_assessment", "assessment_family")
     d = d.join(fam, "k_assessment", "left")
     xw = seed(wh("xwalk_assessment_scores")).select(
@@ -97,21 +87,41 @@ def fct_student_assessment(wh) -> DataFrame:
     unmapped scores kept in ``v_other_results`` (A15); students resolved
     against dim_student (J2, NULL for historic years) and kept only if the
     student is ever known (J4 left semi on the cross-year key)."""
-    sa = wh("stg_ef3__student_assessments")
-    long = wh.table("bld_student_assessments_long_results")
+    key = "k_student_assessment"
     names = crosswalk_values(wh("xwalk_assessment_scores"), "normalized_score_name")
-    wide = pivot_values(long.filter(F.col("normalized_score_name") != "other"), ["k_student_assessment"],
-                        "normalized_score_name", names, "score_result", agg="max")
-    other = (long.filter(F.col("normalized_score_name") == "other").groupBy("k_student_assessment")
-             .agg(map_agg("original_score_name", "score_result").alias("v_other_results")))
+    sa = with_copies(wh, wh("stg_ef3__student_assessments"), "bld_student_assessment_cross_tenant", key,
+                     [key, "k_assessment", "k_student", "k_student_xyear", "tenant_code", "school_year"])
+    j = _resolved(wh, sa).join(
+        _results(wh("bld_student_assessments_long_results"), key, names).withColumnRenamed(key, f"{key}__original"),
+        f"{key}__original", "left")
+    return j.select(key, "k_assessment", "k_student", "k_student_xyear", "tenant_code", "student_assessment_identifier",
+                    "school_year", "administration_date", "when_assessed_grade_level", *_copy_columns(wh, key), *names,
+                    "v_other_results")
+
+
+def _results(long: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """X1 A15 in one aggregate: a column per normalized score (max), the
+    unmapped ones in ``v_other_results`` (NULL if none)."""
+    score = F.col("normalized_score_name")
+    other = F.collect_list(F.when(score == "other", F.struct("original_score_name", "score_result")))
+    return long.groupBy(key).agg(
+        *[F.max(F.when(score == F.lit(n), F.col("score_result"))).alias(n) for n in names],
+        other.alias("__other")).withColumn(
+        "v_other_results", F.when(F.size("__other") > 0, F.map_from_entries("__other"))).drop("__other")
+
+
+def _resolved(wh, results: DataFrame) -> DataFrame:
+    """Results of students ever known, ``k_student`` NULL where the
+    student has no demographics for that year."""
     stu = wh("dim_student")
-    known = stu.select("k_student_xyear").distinct()
-    j = (sa.join(known, "k_student_xyear", "left_semi")
-         .join(stu.select(F.col("k_student").alias("__dim_student")), sa.k_student == F.col("__dim_student"), "left")
-         .join(wide, "k_student_assessment", "left").join(other, "k_student_assessment", "left"))
-    return j.select("k_student_assessment", "k_assessment", F.col("__dim_student").alias("k_student"),
-                    "k_student_xyear", "tenant_code", "student_assessment_identifier", "school_year",
-                    "administration_date", "when_assessed_grade_level", *names, "v_other_results")
+    return (results.join(stu.select("k_student_xyear").distinct(), "k_student_xyear", "left_semi")
+            .withColumnRenamed("k_student", "__k_student")
+            .join(stu.select("k_student"), F.col("__k_student") == F.col("k_student"), "left").drop("__k_student"))
+
+
+def _copy_columns(wh, key: str) -> list[str]:
+    """Columns that facts have only where results are copied across tenants."""
+    return [f"{key}__original", "is_original_record", "original_tenant_code"] if wh.config.cross_tenant_assessments else []
 
 
 _OBJ_KEY = ["assessment_identifier", "namespace", "objective_assessment_identification_code"]
@@ -120,11 +130,16 @@ _OBJ_KEY = ["assessment_identifier", "namespace", "objective_assessment_identifi
 @dataset("dim_objective_assessment", grain=("k_objective_assessment",), domain="assessment")
 def dim_objective_assessment(wh) -> DataFrame:
     """Objective assessments with their parent assessment key, one row per key."""
-    o = wh("stg_ef3__objective_assessments")
-    o = deduplicate(o, ["k_objective_assessment"], [F.col("tenant_code").asc_nulls_last(),
-                                                    F.col("api_year").asc_nulls_last()])
-    return o.select("k_objective_assessment", "k_assessment", "tenant_code", F.col("api_year").alias("school_year"),
-                    *_OBJ_KEY, "objective_assessment_description", "academic_subject")
+    o = wh("stg_ef3__objective_assessments").withColumn("school_year", F.col("api_year"))
+    key = "k_objective_assessment"
+    o = (o.join(wh("bld_objective_assessment_scores").select(key, "scores_array"), key, "left")
+         .join(wh("bld_objective_assessment_performance_levels").select(key, "performance_levels_array"), key, "left"))
+    o = dimension_with_copies(wh, o, "bld_student_objective_assessment_cross_tenant", key,
+                              [key, "k_assessment", "tenant_code", "school_year"])
+    o = first_by(o, ["k_assessment", key], [("tenant_code", "asc nulls last"), ("school_year", "asc nulls last")])
+    return o.select(key, "k_assessment", "tenant_code", "school_year", *_OBJ_KEY, "objective_assessment_description",
+                    "max_raw_score", "nomenclature", "percent_of_assessment", "academic_subject", "scores_array",
+                    "performance_levels_array")
 
 
 @dataset("bld_student_objective_assessments_long_results",
@@ -137,8 +152,8 @@ def student_objective_assessments_long_results(wh) -> DataFrame:
     pl = wh("stg_ef3__student_objective_assessments__performance_levels").select(
         *cols[:5], F.col("performance_level_name").alias("score_name"),
         F.col("performance_level_result").alias("score_result"))
-    d = deduplicate(sr.unionByName(pl), ["k_student_objective_assessment", "score_name"],
-                    [F.col("score_result").desc_nulls_first()])
+    d = first_by(sr.unionByName(pl), ["k_student_objective_assessment", "score_name"],
+                 [("score_result", "desc nulls first")])
     xw = seed(wh("xwalk_objective_assessment_scores")).withColumnRenamed("original_score_name", "score_name")
     j = d.join(xw, [*_OBJ_KEY, "score_name"], "left")
     return j.select("tenant_code", "k_student_objective_assessment", F.col("score_name").alias("original_score_name"),
@@ -150,21 +165,18 @@ def student_objective_assessments_long_results(wh) -> DataFrame:
 def fct_student_objective_assessment(wh) -> DataFrame:
     """Wide normalized scores, other scores in a map, students
     ever known only, one row per key."""
-    sa = wh("stg_ef3__student_objective_assessments")
-    long = wh.table("bld_student_objective_assessments_long_results")
+    key = "k_student_objective_assessment"
     names = crosswalk_values(wh("xwalk_objective_assessment_scores"), "normalized_score_name")
-    wide = pivot_values(long.filter(F.col("normalized_score_name") != "other"), ["k_student_objective_assessment"],
-                        "normalized_score_name", names, "score_result", agg="max")
-    other = (long.filter(F.col("normalized_score_name") == "other").groupBy("k_student_objective_assessment")
-             .agg(map_agg("original_score_name", "score_result").alias("v_other_results")))
-    stu = wh("dim_student")
-    j = (sa.join(stu.select("k_student_xyear").distinct(), "k_student_xyear", "left_semi")
-         .join(stu.select(F.col("k_student").alias("__dim_student")), sa.k_student == F.col("__dim_student"), "left")
-         .join(wide, "k_student_objective_assessment", "left").join(other, "k_student_objective_assessment", "left"))
-    j = deduplicate(j, ["k_student_objective_assessment"], [F.col("school_year").desc_nulls_first()])
-    return j.select("k_student_objective_assessment", "k_objective_assessment", "k_student_assessment",
-                    "k_assessment", F.col("__dim_student").alias("k_student"), "k_student_xyear", "tenant_code",
-                    "school_year", "administration_date", *names, "v_other_results")
+    sa = with_copies(wh, wh("stg_ef3__student_objective_assessments"), "bld_student_objective_assessment_cross_tenant", key,
+                     [key, "k_objective_assessment", "k_student_assessment", "k_assessment", "k_student", "k_student_xyear",
+                      "tenant_code", "school_year"])
+    # a key made anew can meet that of a record the tenant has itself, which wins
+    one = first_by(_resolved(wh, sa), [key], [("is_original_record", "desc nulls last"), ("school_year", "desc nulls first")])
+    j = one.join(
+        _results(wh("bld_student_objective_assessments_long_results"), key, names).withColumnRenamed(key, f"{key}__original"),
+        f"{key}__original", "left")
+    return j.select(key, "k_objective_assessment", "k_student_assessment", "k_assessment", "k_student", "k_student_xyear",
+                    "tenant_code", "school_year", "administration_date", *_copy_columns(wh, key), *names, "v_other_results")
 
 
 @dataset("bld_objective_assessment_scores", grain=("k_objective_assessment",), domain="assessment")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import display_name, race_label
 from ..operators.dedupe import deduplicate
-from ..operators.reshape import crosswalk_values, pivot_2d
+from ..operators.reshape import pivot_2d
 from ..operators.sets import sorted_array
 from .registry import dataset
 
@@ -42,10 +42,10 @@ def immutable_candidate_demos(wh) -> DataFrame:
 
 @dataset("bld_candidate__other_names", grain=("k_candidate",), domain="tpdm")
 def candidate_other_names(wh) -> DataFrame:
-    """Other-name type x name part, types probed from the data."""
+    """A column per configured other-name type and name part."""
     o = wh("stg_tpdm__candidates__other_names")
     return pivot_2d(o, ["tenant_code", "api_year", "k_candidate", "k_candidate_xyear"], "other_name_type",
-                    crosswalk_values(o, "other_name_type"), ["first_name", "last_surname"])
+                    wh.config.candidate_name_types, ["first_name", "last_surname"])
 
 
 @dataset("dim_candidate", grain=("k_candidate",), domain="tpdm")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import deduplicate
+from ..operators.dedupe import first_by
 from ..operators.joins import seed
 from ..operators.reshape import crosswalk_values, pivot_values
 from ..operators.sets import sorted_struct_array
@@ -49,17 +49,17 @@ def student_cohort_years(wh) -> DataFrame:
     """Array of {type, year, term} objects per student."""
     c = wh("stg_ef3__stu_ed_org__cohort_years")
     return c.groupBy("tenant_code", "api_year", "k_student").agg(
-        sorted_struct_array(F.col("cohort_year_type").alias("cohort_type"), F.col("school_year").alias("school_year"),
-                            F.col("academic_term").alias("term")).alias("cohort_years_array"))
+        sorted_struct_array("cohort_year_type", "school_year", "academic_term").alias("cohort_year_array"))
 
 
 @dataset("bld_student_program__special_education__primary_disability", grain=("k_student_program",))
 def primary_disability(wh) -> DataFrame:
     """The first-order disability, first by type when several."""
     d = wh("stg_ef3__stu_spec_ed__disabilities").filter(F.col("order_of_disability") == 1)
-    return deduplicate(d, ["k_student_program"], [F.col("disability_type").asc_nulls_last()]).select(
-        "tenant_code", "school_year", "k_student_program", "k_student", "k_program",
-        F.col("disability_type").alias("primary_disability_type"))
+    return first_by(d, ["k_student_program"], [
+        ("disability_type", "asc nulls last"), ("disability_source_type", "asc nulls last")]).select(
+        "tenant_code", "school_year", "k_student_program", "k_student", "k_student_xyear", "k_program", "k_lea", "k_school",
+        "program_enroll_begin_date", "disability_type", "disability_source_type", "disability_diagnosis", "order_of_disability")
 
 
 @dataset("bld_wide_ids_lea", grain=("tenant_code", "api_year", "k_lea"))

@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import ProgramSpec
+from ..config import PROGRAMS, ProgramSpec
 from ..functions.columns import not_in
 from ..operators.joins import seed
-from ..operators.sets import sorted_array
+from ..operators.sets import sorted_array, union_all
+from ..sources.program_stages import GENERIC, PROGRAM_STAGES
 from .registry import dataset
 
 
 @dataset("dim_program", grain=("k_program",))
 def dim_program(wh) -> DataFrame:
-    """P1 projection of programs (one row per program key)."""
-    p = wh("stg_ef3__programs")
-    return p.groupBy("k_program").agg(
-        F.min("tenant_code").alias("tenant_code"), F.min("program_id").alias("program_id"),
-        F.min("program_name").alias("program_name"), F.min("program_type").alias("program_type"))
+    """A projection; the program key holds its ed-org."""
+    return wh("stg_ef3__programs").select(
+        "k_program", "k_lea", "k_school", F.col("api_year").alias("school_year"), "tenant_code", "ed_org_id", "ed_org_type",
+        "program_id", "program_name", "program_type")
 
 
 @dataset("fct_student_program_association", grain=("k_student_program",))
@@ -64,113 +64,106 @@ def student_programs(wh) -> DataFrame:
     return j.select(*cols, "ed_org_id")
 
 
-# One builder serves the seven program domains; the derived data carries one
-# program stage, split by program name for two of them.
-PROGRAMS = {
-    "homeless": ProgramSpec(name="homeless", source="stg_ef3__student_program_associations",
-                            excluded_program_names=("3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"),
-                            attribute_columns=("is_served_outside_regular_session", "participation_status")),
-    "title_i_part_a": ProgramSpec(name="title_i_part_a", source="stg_ef3__student_program_associations",
-                                  excluded_program_names=("1-URGENT",),
-                                  custom_aggregates=(("n_title_i_enrollments", "count(*)"),)),
-    "cte": ProgramSpec(name="cte", source="stg_ef3__student_program_associations",
-                       excluded_program_names=("1-URGENT", "2-HIGH")),
-    "food_service": ProgramSpec(name="food_service", source="stg_ef3__student_program_associations",
-                                excluded_program_names=("5-LOW",), attribute_columns=("participation_status",)),
-    "language_instruction": ProgramSpec(name="language_instruction", source="stg_ef3__student_program_associations",
-                                        excluded_program_names=("3-MEDIUM",)),
-    "migrant_education": ProgramSpec(name="migrant_education", source="stg_ef3__student_program_associations",
-                                     excluded_program_names=("4-NOT SPECIFIED", "5-LOW")),
-    "special_education": ProgramSpec(name="special_education", source="stg_ef3__student_program_associations",
-                                     excluded_program_names=(),
-                                     attribute_columns=("is_served_outside_regular_session",)),
-}
-
-
 def program_flags(wh, spec: ProgramSpec) -> DataFrame:
-    """``is_{name}_active`` / ``_annual`` / ``_ever`` plus
-    attribute maxes and configured aggregates, one row per student-year."""
+    """``is_{flag}_active`` / ``_annual`` / ``_ever``, configured
+    aggregates and attribute maxima, one row per student-year of the program's
+    own stage."""
     today = wh.config.today()
-    st = wh(spec.source)
+    st = wh(PROGRAM_STAGES[spec.stage].associations)
     keep = not_in("program_name", spec.excluded_program_names)
     begin, end = F.col(spec.begin_column), F.col(spec.exit_column)
-    active = keep & (begin <= today) & (end.isNull() | (end > today))
-    aggs = [F.min("tenant_code").alias("tenant_code"),
-            F.max(active).alias(f"is_{spec.name}_active"),
-            F.max(keep).alias(f"is_{spec.name}_annual")]
-    aggs += [F.expr(sql).alias(name) for name, sql in spec.custom_aggregates]
-    aggs += [F.max(c).alias(c) for c in spec.attribute_columns]
-    maxed = st.groupBy("k_student", "k_student_xyear").agg(*aggs)
-    ever = maxed.groupBy("k_student_xyear").agg(F.max(f"is_{spec.name}_annual").alias(f"is_{spec.name}_ever"))
+    maxed = st.groupBy("k_student", "k_student_xyear").agg(
+        F.min("tenant_code").alias("tenant_code"),
+        F.max(keep & (begin <= today) & (end.isNull() | (end > today))).alias(f"is_{spec.flag}_active"),
+        F.max(keep).alias(f"is_{spec.flag}_annual"),
+        *[F.expr(sql).alias(name) for name, sql in spec.custom_aggregates],
+        *[F.max(c).alias(c) for c in spec.attributes])
+    ever = maxed.groupBy("k_student_xyear").agg(F.max(f"is_{spec.flag}_annual").alias(f"is_{spec.flag}_ever"))
     return maxed.join(ever, "k_student_xyear", "left")
 
 
-@dataset("bld_student_program__homeless", grain=("k_student",))
-def student_program_homeless(wh) -> DataFrame:
-    return program_flags(wh, PROGRAMS["homeless"])
+def program_services(wh, short: str) -> DataFrame:
+    """Sorted service list per enrollment of one program stage."""
+    s = wh(f"stg_ef3__stu_{short}__program_services")
+    return s.groupBy("tenant_code", "api_year", "k_student_program", "k_student", "k_student_xyear", "k_program", "k_lea",
+                     "k_school", "program_enroll_begin_date").agg(sorted_array("program_service").alias("program_services"))
 
 
-@dataset("bld_student_program__title_i_part_a", grain=("k_student",))
-def student_program_title_i(wh) -> DataFrame:
-    return program_flags(wh, PROGRAMS["title_i_part_a"])
+for _build in PROGRAMS:
+    def _flags(wh, _name=_build) -> DataFrame:
+        return program_flags(wh, wh.config.program(_name))
 
-
-for _name in ("cte", "food_service", "language_instruction", "migrant_education", "special_education"):
-    def _builder(wh, _spec=PROGRAMS[_name]) -> DataFrame:
-        return program_flags(wh, _spec)
-    dataset(f"bld_student_program__{_name}", grain=("k_student",))(_builder)
+    def _services(wh, _name=_build) -> DataFrame:
+        return program_services(wh, PROGRAM_STAGES[wh.config.program(_name).stage].short)
+    dataset(f"bld_student_program__{_build}", grain=("k_student",))(_flags)
+    dataset(f"bld_student_program__{_build}__program_services", grain=("k_student_program",))(_services)
 
 
 @dataset("bld_student_program__program_services", grain=("k_student_program",))
-def program_services(wh) -> DataFrame:
-    """Sorted service list per program enrollment."""
-    s = wh("stg_ef3__program_services")
-    return s.groupBy("tenant_code", "k_student_program", "k_student", "k_student_xyear", "k_program",
-                     "k_school", "program_enroll_begin_date").agg(
-        sorted_array("program_service").alias("program_services"))
+def generic_program_services(wh) -> DataFrame:
+    return program_services(wh, GENERIC.short)
 
 
-@dataset("fct_student_program_service", grain=("k_student_program", "program_service"))
-def fct_student_program_service(wh) -> DataFrame:
-    """Service rows of all program stages (unioned by name, missing
-    columns NULL, source tagged) joined to known programs."""
-    from ..operators.sets import union_all
-    s = wh("stg_ef3__program_services")
-    stages = [s.filter(F.col("primary_indicator")),
-              s.filter(~F.col("primary_indicator")).drop("service_end_date")]
-    u = union_all(stages, allow_missing=True, source_col="program_source", names=["primary", "secondary"])
-    return u.join(wh("dim_program").select("k_program"), "k_program").select(
-        "k_student_program", "k_student", "k_student_xyear", "k_program", "k_school", "tenant_code",
-        "program_enroll_begin_date", "program_service", "primary_indicator", "service_begin_date",
-        "service_end_date", "program_source")
+def program_union(wh, what: str) -> DataFrame:
+    """The service or status rows of the generic stage and of every enabled
+    program's, united by column name; columns a stage lacks are NULL."""
+    shorts = [GENERIC.short, *(PROGRAM_STAGES[s.stage].short for s in wh.config.enabled_programs().values())]
+    return union_all([wh(f"stg_ef3__stu_{short}__{what}") for short in shorts], allow_missing=True)
+
+
+def _taken(df: DataFrame, columns: dict[str, str]) -> list:
+    """Columns of a union; those that no stage has are typed NULLs."""
+    return [F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in columns.items()]
 
 
-# program statuses come from several program stages with different columns
-PARTICIPATION_SOURCES = ("stg_ef3__stu_program__program_participation_statuses",
-                         "stg_ef3__stu_homeless__program_participation_statuses")
+@dataset("fct_student_program_service", grain=("k_student_program", "program_service"))
+def fct_student_program_service(wh) -> DataFrame:
+    """Services of all program stages, joined to known programs."""
+    u = program_union(wh, "program_services").join(wh("dim_program").select("k_program"), "k_program")
+    cip = {"cip_code": "string"} if wh.config.enabled("cte") else {}
+    return u.select("k_student_program", "k_student", "k_student_xyear", "k_program", "tenant_code", "program_enroll_begin_date",
+                    "program_service", "primary_indicator",
+                    *_taken(u, {"v_providers": "string", **cip, "service_begin_date": "date", "service_end_date": "date"}))
 
 
 @dataset("fct_student_program_participation_status",
          grain=("k_student_program", "participation_status", "status_begin_date"))
 def fct_student_program_participation_status(wh) -> DataFrame:
-    """Statuses of every configured program stage, unioned by name
-    (missing columns NULL) with the stage named; no dimension join."""
-    from ..operators.sets import union_all
-    frames = [wh(s) for s in PARTICIPATION_SOURCES]
-    return union_all(frames, allow_missing=True, source_col="program_source",
-                     names=[s.split("__")[1] for s in PARTICIPATION_SOURCES])
-
-
-def _program_association(wh, program: str) -> DataFrame:
-    """A program-specific stage joined to known students and programs."""
-    st = wh(f"stg_ef3__student_{program}_program_associations")
-    j = st.join(wh("dim_student").select("k_student"), "k_student").join(wh("dim_program").select("k_program"),
-                                                                        "k_program")
-    return j
-
-
-for _p in ("homeless", "language_instruction", "special_education", "title_i_part_a", "cte", "school_food_service",
-           "migrant_education"):
-    def _fact(wh, _prog=_p) -> DataFrame:
-        return _program_association(wh, _prog)
-    dataset(f"fct_student_{_p}_program_association", grain=("k_student_program",))(_fact)
+    """Statuses of all program stages; no dimension join."""
+    u = program_union(wh, "program_participation_statuses")
+    return u.select("k_student_program", "k_student", "k_student_xyear", "k_program", "tenant_code", "program_enroll_begin_date",
+                    "participation_status", *_taken(u, {"status_begin_date": "date", "status_end_date": "date",
+                                                        "designated_by": "string"}))
+
+
+_ENROLLMENT = ("k_student_program", "k_student", "k_student_xyear", "k_program", "k_lea", "k_school", "tenant_code",
+               "school_year", "program_enroll_begin_date", "program_enroll_end_date")
+
+
+def program_association(wh, stage: str) -> DataFrame:
+    """A program's own stage joined to known students and programs."""
+    spec = PROGRAM_STAGES[stage]
+    st = wh(spec.associations)
+    j = (st.drop("k_student_xyear").join(wh("dim_student").select("k_student", "k_student_xyear"), "k_student")
+         .join(wh("dim_program").select("k_program"), "k_program"))
+    more = [c for c in wh.config.extensions.get(spec.associations, ()) if c in st.columns]
+    return j.select(*_ENROLLMENT, *[name for name, _ in spec.attributes], *more)
+
+
+@dataset("fct_student_special_education_program_association", grain=("k_student_program",))
+def fct_student_special_education_program_association(wh) -> DataFrame:
+    """The special-education enrollments with their services (J2: not all have
+    some) and primary disability."""
+    key = "k_student_program"
+    services = wh("bld_student_program__special_education__program_services").select(
+        key, F.col("program_services").alias("special_education_program_services"))
+    disability = wh("bld_student_program__special_education__primary_disability").select(
+        key, F.col("disability_type").alias("primary_disability_type"))
+    return program_association(wh, "special_education").join(services, key, "left").join(disability, key, "left")
+
+
+for _fact, _stage in (("homeless", "homeless"), ("language_instruction", "language_instruction"), ("title_i_part_a", "title_i_part_a"),
+                      ("cte", "cte"), ("school_food_service", "food_service"), ("migrant_education", "migrant_education")):
+    def _association(wh, _of=_stage) -> DataFrame:
+        return program_association(wh, _of)
+    dataset(f"fct_student_{_fact}_program_association", grain=("k_student_program",))(_association)

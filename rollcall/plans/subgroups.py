@@ -18,11 +18,14 @@ ALL = "all_students"
 
 
 def _long(wh) -> DataFrame:
-    """dim_student unpivoted to (subgroup_category, subgroup_value) with NULLs kept."""
+    """dim_student unpivoted to (subgroup_category, subgroup_value) with NULLs
+    kept; the columns of student ids are left out too."""
     stu = wh("dim_student")
+    arrays = [f.name for f in stu.schema.fields if f.dataType.typeName() in ("array", "map", "struct")]
     return unpivot(stu, ["k_student", "k_student_xyear", "tenant_code", "school_year"],
                    exclude=[c for c in _NOT_SUBGROUPS if c not in ("k_student", "k_student_xyear", "tenant_code",
                                                                    "school_year")],
+                   remove=[*arrays, *(c for c in wh("bld_wide_ids_student").columns if c != "ed_org_id")],
                    name_col="subgroup_category", value_col="subgroup_value")
 
 

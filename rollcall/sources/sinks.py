@@ -39,6 +39,16 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def materialize_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
+    """Write as a table of ``buckets`` files, each holding the rows of one hash of
+    ``key`` sorted by it, and read back.  Rows are dealt by the same hash first, so
+    that every task writes one file."""
+    name = f"rollcall_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("overwrite")
+     .format("parquet").saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def audit(violations: DataFrame, check: str, severity: str, run_date: dt.date | None = None) -> DataFrame:
     """Violating rows tagged with the check name, severity and run date."""
     rd = F.lit(run_date) if run_date else F.current_date()

@@ -12,7 +12,7 @@ tenant / LEA                    region, nation (tenant = region name)
 school                          supplier (tenant from the supplier's nation)
 calendars, dates, events,       one or two calendars per school, every day of
 sessions                        January 2024, three sessions per school
-student (per year)              customer; home school = supplier c_custkey % number of suppliers
+student (per year)              customer; home school = the supplier at index c_custkey % count
 enrollment                      customer (entry/exit/withdraw rules on the key)
 attendance event                events (student = user_id, day = date(ts))
 grades                          lineitem (student = order's customer)
@@ -24,8 +24,8 @@ identification codes            part (type -> brand)
 ==============================  ==============================================
 
 Every relation is a lazy DataFrame: column pruning and filters reach the
-parquet scans.  The "home school" lookup has one row per supplier and is left
-to a shuffled or runtime-broadcast join.
+parquet scans.  The "home school" lookup has one row per supplier and is a
+written table of known size, which Spark broadcasts below its threshold.
 """
 
 from __future__ import annotations
@@ -37,7 +37,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key as key
+from ..operators.numbering import dense_index
 from . import seeds
+from .program_stages import ProgramStaging
+from .sinks import materialize, table_root
 
 # fixed values: shape of the derived school year
 SCHOOL_YEAR = 2024
@@ -83,17 +86,10 @@ ACCOUNT_DIMENSIONS = [
 ]
 # fixed values: objective codes of every assessment
 OBJECTIVE_CODES = ["OBJ-A", "OBJ-B"]
-# fixed values: program-specific stages (program, filter on orders, extra column, its expression)
-PROGRAM_STAGES = {
-    "homeless": ("o_orderpriority = '1-URGENT'", "homeless_primary_nighttime_residence",
-                 "CASE WHEN o_orderkey % 2 = 0 THEN 'Shelters' ELSE 'Doubled-up' END"),
-    "language_instruction": ("o_orderpriority = '2-HIGH'", "has_english_learner_participation", "o_orderkey % 3 = 0"),
-    "special_education": ("o_orderpriority = '3-MEDIUM'", "special_education_setting", "'Inside regular class'"),
-    "title_i_part_a": ("o_orderpriority = '4-NOT SPECIFIED'", "title_i_part_a_participant_status", "'Targeted'"),
-    "cte": ("o_orderpriority = '5-LOW'", "technical_skills_assessment", "'Passed'"),
-    "school_food_service": ("o_orderstatus = 'F'", "direct_certification", "'Yes'"),
-    "migrant_education": ("o_orderstatus = 'P'", "priority_for_service", "o_orderkey % 2 = 0"),
-}
+# fixed value: subject of all assessments and objectives
+ASSESSMENT_SUBJECT = "Mathematics"
+# fixed values: every TRANSFER_EVERY-th student (at TRANSFER_FIRST) is enrolled in the next school too
+TRANSFER_EVERY, TRANSFER_FIRST = 23, 5
 # fixed values: races by c_custkey % 5 (index 4 = no race rows)
 RACES_BY_KEY = [["White"], ["Black - African American"], ["White", "Asian"], ["Asian"], []]
 
@@ -113,7 +109,17 @@ def _mod(col, n: int) -> Column:
     return F.pmod(F.col(col) if isinstance(col, str) else col, F.lit(n))
 
 
-class Staging:
+def assessment_key(*more: Column, subjects: int = 1) -> Column:
+    """Key of an assessment, or with more columns of what belongs to it."""
+    return key("tenant_code", F.lit(SCHOOL_YEAR), *[F.lower(F.lit(ASSESSMENT_SUBJECT))] * subjects,
+               F.lower("o_orderpriority"), F.lower(F.lit(ASSESSMENT_NAMESPACE)), *more)
+
+
+def student_assessment_key() -> Column:
+    return assessment_key(F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"))
+
+
+class Staging(ProgramStaging):
     """Name -> staging DataFrame (``stg_*``, ``xwalk_*`` and seeds)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -126,14 +132,15 @@ class Staging:
             if name in seeds.NAMES:
                 self._memo[name] = seeds.seed(self.spark, name)
             else:
-                fn = getattr(self, "_" + name, None)
-                if fn is None:
+                fn = getattr(self, "_" + name, lambda: self.program_relation(name))
+                df = fn()
+                if df is None:
                     raise KeyError(f"unknown staging relation {name!r}")
-                self._memo[name] = fn()
+                self._memo[name] = df
         return self._memo[name]
 
     def has(self, name: str) -> bool:
-        return name in seeds.NAMES or hasattr(self, "_" + name)
+        return name in seeds.NAMES or hasattr(self, "_" + name) or self.program_relation(name) is not None
 
     # ---- organizations -------------------------------------------------
     def _nation_tenant(self) -> DataFrame:
@@ -168,26 +175,46 @@ class Staging:
              .otherwise("High School").alias("school_category"),
         )
 
+    def _written(self, df: DataFrame, what: str) -> DataFrame:
+        return materialize(df, f"{table_root(self.spark)}/staging-{what}")
+
     @cached_property
     def n_home_schools(self) -> int:
-        """Number of schools; keys modulo this number name a school."""
-        return self.t("supplier").count()
+        """Number of schools; keys modulo this number are the index of a school."""
+        return max(1, self("home_school").count())
 
     @cached_property
     def n_staff(self) -> int:
-        """Number of staff (customers); keys modulo this number name one."""
-        return max(1, self.t("customer").count())
+        """Number of staff (customers); keys modulo this number are the index of one."""
+        return max(1, self("customer_index").count())
 
     @cached_property
     def n_sections(self) -> int:
-        """Number of sections (parts); keys modulo this number name one."""
-        return max(1, self.t("part").count())
+        """Number of sections (parts); keys modulo this number are the index of one."""
+        return max(1, self("part_index").count())
 
     def _home_school(self) -> DataFrame:
-        """Every school, with its tenant: students are assigned to all of them."""
+        """Every school with its tenant and its dense index: students, parts and
+        events are assigned to all of them, whatever their keys are.  A written
+        table, so that its size is known wherever it is joined."""
         nt = self("nation_tenant").select(F.col("n_nationkey").alias("s_nationkey"), "tenant_code")
-        return self.t("supplier").select("s_suppkey", "s_nationkey").join(nt, "s_nationkey").select(
+        schools = self.t("supplier").select("s_suppkey", "s_nationkey").join(nt, "s_nationkey").select(
             F.col("s_suppkey").alias("home_school_id"), "tenant_code", F.col("s_nationkey").alias("home_nationkey"))
+        return self._written(dense_index(schools, "home_school_id", "school_index", self._written), "home-school")
+
+    def _customer_index(self) -> DataFrame:
+        return self._written(dense_index(self.t("customer").select("c_custkey"), "c_custkey", "staff_index", self._written), "customers")
+
+    def _part_index(self) -> DataFrame:
+        return self._written(dense_index(self.t("part").select("p_partkey"), "p_partkey", "section_index", self._written), "parts")
+
+    def _at_school(self, rows: DataFrame, key_column: str, *columns: str, school: str = "home_school_id",
+                   tenant: str = "tenant_code") -> DataFrame:
+        """Rows with the school (and its tenant) that their key names."""
+        index = f"__index_{school}"
+        schools = self("home_school").select(F.col("school_index").alias(index), F.col("home_school_id").alias(school),
+                                             F.col("tenant_code").alias(tenant), *columns)
+        return rows.join(schools, _mod(key_column, self.n_home_schools) == F.col(index)).drop(index)
 
     # ---- calendars and sessions ------------------------------------------
     def _stg_ef3__calendars(self) -> DataFrame:
@@ -244,25 +271,40 @@ class Staging:
     # ---- students and enrollment ----------------------------------------
     def _customer_home(self) -> DataFrame:
         c = self.t("customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-        c = c.withColumn("home_school_id", _mod("c_custkey", self.n_home_schools))
-        return c.join(self("home_school"), "home_school_id")
+        return self._at_school(c, "c_custkey", "school_index", "home_nationkey")
+
+    def _student_transfers(self) -> DataFrame:
+        """Students enrolled in the next school too, where that is another
+        tenant's.  By ``kind`` the second record is the same (0), has another
+        birth date (1), or other names as well, as if the id named someone else (2)."""
+        c = self("customer_home").filter(_mod("c_custkey", TRANSFER_EVERY) == TRANSFER_FIRST)
+        nxt = self("home_school").select(F.col("school_index").alias("next_index"), F.col("home_school_id").alias("next_school"),
+                                         F.col("tenant_code").alias("next_tenant"))
+        j = c.withColumn("next_index", _mod(F.col("school_index") + 1, self.n_home_schools)).join(nxt, "next_index")
+        return j.filter("next_tenant != tenant_code").select(
+            "c_custkey", F.col("next_tenant").alias("tenant_code"), F.col("next_school").alias("home_school_id"),
+            "c_name", "c_mktsegment", _mod("c_custkey", 3).alias("kind"))
 
     def _stg_ef3__students(self) -> DataFrame:
         c = self("customer_home")
         years = F.when(_mod("c_custkey", 2) == 0, F.array(F.lit(SCHOOL_YEAR), F.lit(PRIOR_YEAR))).otherwise(
             F.array(F.lit(SCHOOL_YEAR)))
-        s = c.select("*", F.explode(years).alias("school_year"))
+        s = c.select("tenant_code", "c_custkey", "c_name", "c_mktsegment", F.lit(0).cast("long").alias("kind"),
+                     F.explode(years).alias("school_year"))
+        s = s.unionByName(self("student_transfers").drop("home_school_id").withColumn("school_year", F.lit(SCHOOL_YEAR)))
         return s.select(
             "tenant_code",
             F.col("school_year").alias("api_year"), "school_year",
             key("tenant_code", "c_custkey", "school_year").alias("k_student"),
             key("tenant_code", "c_custkey").alias("k_student_xyear"),
             F.col("c_custkey").cast("string").alias("student_unique_id"),
-            F.col("c_name").alias("first_name"),
+            F.when(F.col("kind") == 2, F.concat(F.lit("Other "), F.col("c_name"))).otherwise(F.col("c_name")).alias("first_name"),
             F.when(F.col("school_year") == PRIOR_YEAR, F.concat(F.lit("Former "), F.initcap("c_mktsegment")))
+             .when(F.col("kind") == 2, F.concat(F.lit("Other "), F.initcap("c_mktsegment")))
              .otherwise(F.initcap("c_mktsegment")).alias("last_name"),
             F.when(_mod("c_custkey", 3) == 0, F.lit("Quinn")).alias("middle_name"),
-            F.date_add(F.lit(dt.date(2012, 1, 1)), _mod("c_custkey", 2000).cast("int")).alias("birth_date"),
+            F.date_add(F.lit(dt.date(2012, 1, 1)), (_mod("c_custkey", 2000) + F.least("kind", F.lit(1))).cast("int"))
+             .alias("birth_date"),
             F.lit("US").alias("birth_country"),
         )
 
@@ -270,7 +312,9 @@ class Staging:
         c = self("customer_home")
         years = F.when(_mod("c_custkey", 2) == 0, F.array(F.lit(SCHOOL_YEAR), F.lit(PRIOR_YEAR))).otherwise(
             F.array(F.lit(SCHOOL_YEAR)))
-        c = c.select("*", F.explode(years).alias("school_year"))
+        c = c.select("tenant_code", "c_custkey", "home_school_id", F.explode(years).alias("school_year"))
+        c = c.unionByName(self("student_transfers").select("tenant_code", "c_custkey", "home_school_id",
+                                                           F.lit(SCHOOL_YEAR).alias("school_year")))
         return c.select(
             "tenant_code", F.col("school_year").alias("api_year"),
             key("tenant_code", "c_custkey", "school_year").alias("k_student"),
@@ -278,6 +322,7 @@ class Staging:
             F.col("home_school_id").cast("string").alias("ed_org_id"),
             F.lit("School").alias("ed_org_type"),
             F.when(_mod("c_custkey", 2) == 0, "Female").otherwise("Male").alias("gender"),
+            F.when(_mod("c_custkey", 14) == 0, "Nonbinary").alias("gender_identity"),
             (_mod("c_custkey", 9) == 0).alias("has_hispanic_latino_ethnicity"),
             F.when(_mod("c_custkey", 6) == 0, "Limited").alias("lep_code"),
         )
@@ -338,7 +383,16 @@ class Staging:
             F.lit(None).cast("string").alias("exit_withdraw_type"),
             grade.alias("entry_grade_level"),
         )
-        e = base.unionByName(second)
+        transfer = self("student_transfers").select(
+            "tenant_code", "c_custkey", "home_school_id",
+            F.lit(1).alias("enrollment_seq"),
+            main_cal.alias("k_school_calendar"),
+            F.date_add(F.lit(dt.date(2024, 1, 3)), _mod("c_custkey", 5).cast("int")).alias("entry_date"),
+            F.lit(None).cast("date").alias("exit_withdraw_date"),
+            F.lit(None).cast("string").alias("exit_withdraw_type"),
+            grade.alias("entry_grade_level"),
+        )
+        e = base.unionByName(second).unionByName(transfer)
         return e.select(
             "tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
             key("tenant_code", "c_custkey", F.lit(SCHOOL_YEAR)).alias("k_student"),
@@ -351,7 +405,7 @@ class Staging:
 
     def _stg_ef3__student_school_attendance_events(self) -> DataFrame:
         ev = self.t("events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-        ev = ev.withColumn("home_school_id", _mod("user_id", self.n_home_schools)).join(self("home_school"), "home_school_id")
+        ev = self._at_school(ev, "user_id")
         day = F.to_date("ts")
         session = (F.when(_mod("event_id", 4) == 0, "Year Round")
                    .when(F.dayofmonth(day) <= 15, "Half 1").otherwise("Half 2"))
@@ -374,17 +428,19 @@ class Staging:
     def _orders_home(self) -> DataFrame:
         o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                                     "o_orderpriority")
-        o = o.withColumn("home_school_id", _mod("o_custkey", self.n_home_schools)).join(self("home_school"), "home_school_id")
+        o = self._at_school(o, "o_custkey", "home_nationkey")
         return (o.withColumn("begin_date", F.to_date("o_orderdate"))
                 .withColumn("school_year", F.when(F.year("o_orderdate") >= 1998, F.lit(SCHOOL_YEAR))
                             .otherwise(F.lit(PRIOR_YEAR))))
 
     def _stg_ef3__programs(self) -> DataFrame:
-        o = self("orders_home").select("tenant_code", "home_school_id", "o_orderpriority").distinct()
+        o = self("orders_home").select("tenant_code", "home_school_id", "home_nationkey", "o_orderpriority").distinct()
         return o.select(
             "tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
-            key("tenant_code", "o_orderpriority").alias("k_program"),
+            key("tenant_code", "home_school_id", "o_orderpriority").alias("k_program"),
+            key("tenant_code", "home_nationkey").alias("k_lea"),
             key("tenant_code", "home_school_id").alias("k_school"),
+            F.lit("School").alias("ed_org_type"),
             F.col("o_orderpriority").alias("program_name"),
             F.col("o_orderpriority").alias("program_id"),
             F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Intervention").otherwise("Enrichment")
@@ -399,7 +455,7 @@ class Staging:
             "tenant_code", "school_year",
             key("tenant_code", "o_custkey", "school_year").alias("k_student"),
             key("tenant_code", "o_custkey").alias("k_student_xyear"),
-            key("tenant_code", "o_orderpriority").alias("k_program"),
+            key("tenant_code", "home_school_id", "o_orderpriority").alias("k_program"),
             key("tenant_code", "o_custkey", "o_orderkey").alias("k_student_program"),
             key("tenant_code", "home_school_id").alias("k_school"),
             F.col("home_school_id").cast("string").alias("ed_org_id"),
@@ -410,20 +466,6 @@ class Staging:
             (_mod("o_orderkey", 3) == 0).alias("is_served_outside_regular_session"),
         )
 
-    def _stg_ef3__program_services(self) -> DataFrame:
-        """Services per program enrollment: one or two per order (by key)."""
-        a = self("stg_ef3__student_program_associations")
-        o = self("orders_home").select(key("tenant_code", "o_custkey", "o_orderkey").alias("k_student_program"),
-                                       "o_orderkey", "o_totalprice")
-        svc = F.when(_mod("o_orderkey", 2) == 0, F.array(F.lit("Counseling"), F.lit("Tutoring"))).otherwise(
-            F.array(F.lit("Tutoring")))
-        j = a.join(o, "k_student_program").select("*", F.explode(svc).alias("program_service"))
-        return j.select("tenant_code", "k_student_program", "k_student", "k_student_xyear", "k_program", "k_school",
-                        "program_enroll_begin_date", "program_service",
-                        (F.col("program_service") == "Tutoring").alias("primary_indicator"),
-                        F.col("program_enroll_begin_date").alias("service_begin_date"),
-                        F.col("program_enroll_end_date").alias("service_end_date"))
-
     # ---- finance (orders) ---------------------------------------------------
     def _stg_ef3__local_accounts(self) -> DataFrame:
         o = self("orders_home").select("tenant_code", "o_custkey", "home_school_id").distinct()
@@ -474,7 +516,7 @@ class Staging:
     # ---- courses, sections, grading periods, grades (part, lineitem) --------
     def _part_home(self) -> DataFrame:
         p = self.t("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-        return p.withColumn("home_school_id", _mod("p_partkey", self.n_home_schools)).join(self("home_school"), "home_school_id")
+        return self._at_school(p, "p_partkey", "home_nationkey")
 
     def _stg_ef3__courses(self) -> DataFrame:
         p = self("part_home")
@@ -510,13 +552,8 @@ class Staging:
         li = self.t("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag",
                                        "l_linestatus")
         o = self.t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-        hs = self("home_school")
-        stu_home = hs.select(F.col("home_school_id").alias("stu_school"), F.col("tenant_code"))
-        part_home = hs.select(F.col("home_school_id").alias("part_school"), F.col("tenant_code").alias("part_tenant"))
-        g = (li.join(o, "l_orderkey")
-             .withColumn("stu_school", _mod("o_custkey", self.n_home_schools))
-             .withColumn("part_school", _mod("l_partkey", self.n_home_schools))
-             .join(stu_home, "stu_school").join(part_home, "part_school"))
+        g = self._at_school(li.join(o, "l_orderkey"), "o_custkey", school="stu_school")
+        g = self._at_school(g, "l_partkey", school="part_school", tenant="part_tenant")
         period = F.when(_mod("l_linenumber", 2) == 0, F.lit(GRADING_PERIODS[0][0])).otherwise(F.lit(GRADING_PERIODS[1][0]))
         return g.select(
             "tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
@@ -533,7 +570,7 @@ class Staging:
     def _error_events(self) -> DataFrame:
         ev = (self.t("events").select("event_id", "ts", "user_id", "event_type", "value")
               .filter(F.col("event_type") == "error"))
-        ev = ev.withColumn("home_school_id", _mod("user_id", self.n_home_schools)).join(self("home_school"), "home_school_id")
+        ev = self._at_school(ev, "user_id")
         band = F.when(F.col("value") >= 200, "Major").when(F.col("value") >= 50, "Moderate").otherwise("Minor")
         return ev.withColumn("behavior_type", band).withColumn("incident_date", F.to_date("ts"))
 
@@ -595,17 +632,28 @@ class Staging:
         )
 
     # ---- assessments (orders, lineitem) -------------------------------------
+    def _assessment_orders(self) -> DataFrame:
+        """Orders as assessment results; some results of students enrolled in a
+        second tenant are reported by that one too."""
+        cols = ["tenant_code", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "begin_date",
+                "school_year"]
+        o = self("orders_home").select(*cols)
+        to = self("student_transfers").select(F.col("c_custkey").alias("o_custkey"), F.col("tenant_code").alias("to_tenant"))
+        again = (o.filter(_mod("o_orderkey", 5) == 0).join(to, "o_custkey")
+                 .withColumn("tenant_code", F.col("to_tenant")).select(*cols))
+        return o.unionByName(again)
+
     def _stg_ef3__assessments(self) -> DataFrame:
-        o = self("orders_home").select("tenant_code", "o_orderpriority").distinct()
+        o = self("assessment_orders").select("tenant_code", "o_orderpriority").distinct()
         return o.select(
             "tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
-            key("tenant_code", F.lit("ASMT"), "o_orderpriority").alias("k_assessment"),
+            assessment_key().alias("k_assessment"),
             F.col("o_orderpriority").alias("assessment_identifier"),
             F.lit(ASSESSMENT_NAMESPACE).alias("namespace"),
             F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Screener").otherwise("Benchmark")
              .alias("assessment_family"),
             F.concat(F.lit("Assessment "), F.col("o_orderpriority")).alias("assessment_title"),
-            F.lit("Mathematics").alias("academic_subject"))
+            F.lit(ASSESSMENT_SUBJECT).alias("academic_subject"))
 
     def _stg_ef3__assessments__scores(self) -> DataFrame:
         a = self("stg_ef3__assessments").select("tenant_code", "api_year", "k_assessment")
@@ -622,34 +670,36 @@ class Staging:
         return a.select("*", F.explode(F.array(F.lit("Third grade"), F.lit("Fourth grade"))).alias("grade_level"))
 
     def _stg_ef3__student_assessments(self) -> DataFrame:
-        o = self("orders_home")
+        o = self("assessment_orders")
         return o.select(
             "tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"), "school_year",
-            key("tenant_code", "o_orderkey").alias("k_student_assessment"),
-            key("tenant_code", F.lit("ASMT"), "o_orderpriority").alias("k_assessment"),
+            student_assessment_key().alias("k_student_assessment"),
+            assessment_key().alias("k_assessment"),
             key("tenant_code", "o_custkey", "school_year").alias("k_student"),
             key("tenant_code", "o_custkey").alias("k_student_xyear"),
+            F.col("o_custkey").cast("string").alias("student_unique_id"),
             F.col("o_orderkey").cast("string").alias("student_assessment_identifier"),
             F.col("o_orderpriority").alias("assessment_identifier"),
             F.lit(ASSESSMENT_NAMESPACE).alias("namespace"),
+            F.lit(ASSESSMENT_SUBJECT).alias("academic_subject"),
             F.col("begin_date").alias("administration_date"),
             F.when(_mod("o_orderkey", 2) == 0, "Third grade").otherwise("Fourth grade").alias("when_assessed_grade_level"))
 
     def _stg_ef3__student_assessments__score_results(self) -> DataFrame:
         li = self.t("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
-        o = self("orders_home").select("o_orderkey", "tenant_code", "o_orderpriority")
+        o = self("assessment_orders").select("o_orderkey", "o_custkey", "tenant_code", "o_orderpriority")
         j = li.join(o, "o_orderkey")
         name = F.element_at(F.array(*[F.lit(n) for n in SCORE_NAMES]), (_mod("l_linenumber", 3) + 1).cast("int"))
         return j.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
-                        key("tenant_code", "o_orderkey").alias("k_student_assessment"),
-                        key("tenant_code", F.lit("ASMT"), "o_orderpriority").alias("k_assessment"),
+                        student_assessment_key().alias("k_student_assessment"),
+                        assessment_key().alias("k_assessment"),
                         F.col("o_orderpriority").alias("assessment_identifier"),
                         F.lit(ASSESSMENT_NAMESPACE).alias("namespace"),
                         name.alias("score_name"),
                         F.col("l_quantity").cast("int").cast("string").alias("score_result"))
 
     def _stg_ef3__student_assessments__performance_levels(self) -> DataFrame:
-        o = self("orders_home")
+        o = self("assessment_orders")
         level = F.when(F.col("o_orderstatus") == "F", "Proficient").when(F.col("o_orderstatus") == "O", "Approaching") \
             .otherwise("Below")
         pls = F.when(_mod("o_orderkey", 5) == 0,
@@ -658,8 +708,8 @@ class Staging:
                      ).otherwise(F.array(F.struct(F.lit("Proficiency").alias("n"), level.alias("r"))))
         x = o.select("*", F.explode(pls).alias("p"))
         return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
-                        key("tenant_code", "o_orderkey").alias("k_student_assessment"),
-                        key("tenant_code", F.lit("ASMT"), "o_orderpriority").alias("k_assessment"),
+                        student_assessment_key().alias("k_student_assessment"),
+                        assessment_key().alias("k_assessment"),
                         F.col("o_orderpriority").alias("assessment_identifier"),
                         F.lit(ASSESSMENT_NAMESPACE).alias("namespace"),
                         F.col("p.n").alias("performance_level_name"), F.col("p.r").alias("performance_level_result"))
@@ -668,12 +718,8 @@ class Staging:
     def _stg_ef3__student_section_associations(self) -> DataFrame:
         li = self.t("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_linestatus")
         o = self.t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-        hs = self("home_school")
-        j = (li.join(o, "l_orderkey")
-             .join(hs.select(F.col("home_school_id").alias("stu_school"), "tenant_code"),
-                   _mod("o_custkey", self.n_home_schools) == F.col("stu_school"))
-             .join(hs.select(F.col("home_school_id").alias("part_school"), F.col("tenant_code").alias("part_tenant")),
-                   _mod("l_partkey", self.n_home_schools) == F.col("part_school")))
+        j = self._at_school(li.join(o, "l_orderkey"), "o_custkey", school="stu_school")
+        j = self._at_school(j, "l_partkey", school="part_school", tenant="part_tenant")
         begin = F.date_add(F.lit(CAL_START), _mod("l_orderkey", 10).cast("int"))
         return j.select(
             "tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
@@ -716,7 +762,8 @@ class Staging:
         # one teacher for each section that is not vacant
         st = self("staff_home").select("tenant_code", "staff_unique_id", "c_custkey")
         p = self("part_home").filter(F.col("p_size") < VACANT_FROM_SIZE).select(
-            "p_partkey", _mod("p_partkey", self.n_staff).alias("c_custkey"), F.col("tenant_code").alias("p_tenant"))
+            "p_partkey", _mod("p_partkey", self.n_staff).alias("staff_index"), F.col("tenant_code").alias("p_tenant"))
+        p = p.join(self("customer_index"), "staff_index")
         j = st.join(p, "c_custkey")
         return j.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
                         key("tenant_code", "staff_unique_id").alias("k_staff"),
@@ -797,8 +844,11 @@ class Staging:
         return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
                         key("tenant_code", "c_custkey", F.lit(SCHOOL_YEAR)).alias("k_student"),
                         key("tenant_code", "c_custkey").alias("k_student_xyear"), "other_name_type",
+                        F.when(_mod("c_custkey", 6) == 0, F.lit("Dr.")).alias("personal_title_prefix"),
                         F.concat(F.substring("c_name", 1, 3), F.lit("-"), F.left("other_name_type", F.lit(1))).alias("first_name"),
-                        F.upper("c_mktsegment").alias("last_surname"))
+                        F.when(_mod("c_custkey", 4) == 0, F.lit("Lou")).alias("middle_name"),
+                        F.upper("c_mktsegment").alias("last_surname"),
+                        F.when(_mod("c_custkey", 9) == 0, F.lit("Jr.")).alias("generation_code_suffix"))
 
     def _stg_ef3__stu_ed_org__indicators(self) -> DataFrame:
         c = self("customer_home")
@@ -961,7 +1011,7 @@ class Staging:
         prios = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "6-UNKNOWN"]
         prio = F.element_at(F.array(*[F.lit(x) for x in prios]), (_mod("p_partkey", 6) + 1).cast("int"))
         return p.select("tenant_code", key("tenant_code", "p_partkey", F.lit("S1")).alias("k_course_section"),
-                        key("tenant_code", prio).alias("k_program"))
+                        key("tenant_code", "home_school_id", prio).alias("k_program"))
 
     # ---- educator preparation (customers) -----------------------------------------
     def _candidate_home(self) -> DataFrame:
@@ -1074,12 +1124,9 @@ class Staging:
     # ---- section attendance events (events) ---------------------------------------
     def _stg_ef3__student_section_attendance_events(self) -> DataFrame:
         ev = (self.t("events").select("event_id", "ts", "user_id", "event_type")
-              .withColumn("p_partkey", _mod("event_id", self.n_sections)))
-        hs = self("home_school")
-        j = (ev.join(hs.select(F.col("home_school_id").alias("u_school"), "tenant_code"),
-                     _mod("user_id", self.n_home_schools) == F.col("u_school"))
-             .join(hs.select(F.col("home_school_id").alias("p_school"), F.col("tenant_code").alias("p_tenant")),
-                   _mod("p_partkey", self.n_home_schools) == F.col("p_school")))
+              .withColumn("section_index", _mod("event_id", self.n_sections)).join(self("part_index"), "section_index"))
+        j = self._at_school(ev, "user_id", school="u_school")
+        j = self._at_school(j, "p_partkey", school="p_school", tenant="p_tenant")
         return j.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
                         key("tenant_code", "user_id", F.lit(SCHOOL_YEAR)).alias("k_student"),
                         key("p_tenant", "p_partkey", F.lit("S1")).alias("k_course_section"),
@@ -1089,23 +1136,9 @@ class Staging:
                         F.col("event_id").cast("string").alias("attendance_event_reason"))
 
     # ---- program participation statuses, local budgets (orders) ---------------------
-    def _stg_ef3__stu_program__program_participation_statuses(self) -> DataFrame:
-        a = self("stg_ef3__student_program_associations")
-        return a.select("tenant_code", "k_student_program", "k_student", "k_student_xyear", "k_program",
-                        "program_enroll_begin_date", "participation_status",
-                        F.col("program_enroll_begin_date").alias("status_begin_date"),
-                        F.col("program_enroll_end_date").alias("status_end_date"))
-
-    def _stg_ef3__stu_homeless__program_participation_statuses(self) -> DataFrame:
-        a = self("stg_ef3__student_program_associations").filter(F.col("program_name") == "1-URGENT")
-        return a.select("tenant_code", "k_student_program", "k_student", "k_student_xyear", "k_program",
-                        "program_enroll_begin_date", F.lit("Eligible").alias("participation_status"),
-                        F.col("program_enroll_begin_date").alias("status_begin_date"),
-                        F.lit("Counselor").alias("designated_by"))
-
     def _stg_ef3__local_budgets(self) -> DataFrame:
-        o = self("orders_home").filter(F.col("o_orderstatus") == "O")
-        return o.select("tenant_code",
+        o = self("orders_home")
+        return o.select("tenant_code", F.col("o_orderstatus").alias("budget_status"),
                         key("tenant_code", F.lit("budget"), "o_orderkey").alias("k_local_budget_snapshot"),
                         key("tenant_code", "o_custkey").alias("k_local_account"),
                         F.col("o_totalprice").alias("amount"), F.col("begin_date").alias("as_of_date"),
@@ -1118,12 +1151,8 @@ class Staging:
     def _stg_ef3__course_transcripts(self) -> DataFrame:
         li = self.t("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
         o = self.t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-        hs = self("home_school")
-        j = (li.join(o, "l_orderkey")
-             .join(hs.select(F.col("home_school_id").alias("u_school"), "tenant_code"),
-                   _mod("o_custkey", self.n_home_schools) == F.col("u_school"))
-             .join(hs.select(F.col("home_school_id").alias("p_school"), F.col("tenant_code").alias("p_tenant")),
-                   _mod("l_partkey", self.n_home_schools) == F.col("p_school")))
+        j = self._at_school(li.join(o, "l_orderkey"), "o_custkey", school="u_school")
+        j = self._at_school(j, "l_partkey", school="p_school", tenant="p_tenant")
         term = F.when(_mod("l_linenumber", 2) == 1, F.lit("Fall")).otherwise(F.lit("Spring"))
         return j.select("tenant_code",
                         key("p_tenant", "l_partkey").alias("k_course"),
@@ -1199,37 +1228,48 @@ class Staging:
         a = self("stg_ef3__assessments").select("tenant_code", "api_year", "k_assessment", "assessment_identifier",
                                                 "namespace", "academic_subject")
         x = a.select("*", F.explode(F.array(*[F.lit(c) for c in OBJECTIVE_CODES])).alias("objective_assessment_identification_code"))
-        return x.select("*", key("tenant_code", F.lit("ASMT"), "assessment_identifier",
-                                 "objective_assessment_identification_code").alias("k_objective_assessment"),
-                        F.concat(F.lit("Objective "), F.col("objective_assessment_identification_code"))
-                        .alias("objective_assessment_description"))
+        first = F.col("objective_assessment_identification_code") == OBJECTIVE_CODES[0]
+        return x.withColumn("o_orderpriority", F.col("assessment_identifier")).select(
+            "*", assessment_key(F.lower("objective_assessment_identification_code"), subjects=2).alias("k_objective_assessment"),
+            F.concat(F.lit("Objective "), F.col("objective_assessment_identification_code"))
+            .alias("objective_assessment_description"),
+            F.when(first, 100).otherwise(50).alias("max_raw_score"), F.lit("Strand").alias("nomenclature"),
+            F.when(first, 60).otherwise(40).alias("percent_of_assessment")).drop("o_orderpriority")
+
+    def _objective_orders(self) -> DataFrame:
+        o = self("assessment_orders")
+        return o.select("*", F.explode(F.array(*[F.lit(c) for c in OBJECTIVE_CODES])).alias("code"))
 
     def _stg_ef3__student_objective_assessments(self) -> DataFrame:
-        o = self("orders_home")
-        x = o.select("*", F.explode(F.array(*[F.lit(c) for c in OBJECTIVE_CODES])).alias("code"))
-        return x.select("tenant_code", "school_year",
-                        key("tenant_code", "o_orderkey", "code").alias("k_student_objective_assessment"),
-                        key("tenant_code", F.lit("ASMT"), "o_orderpriority", "code").alias("k_objective_assessment"),
-                        key("tenant_code", "o_orderkey").alias("k_student_assessment"),
-                        key("tenant_code", F.lit("ASMT"), "o_orderpriority").alias("k_assessment"),
+        x = self("objective_orders")
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"), "school_year",
+                        self._student_objective_key().alias("k_student_objective_assessment"),
+                        assessment_key(F.lower("code"), subjects=2).alias("k_objective_assessment"),
+                        student_assessment_key().alias("k_student_assessment"),
+                        assessment_key().alias("k_assessment"),
                         key("tenant_code", "o_custkey", "school_year").alias("k_student"),
                         key("tenant_code", "o_custkey").alias("k_student_xyear"),
+                        F.col("o_orderkey").cast("string").alias("student_assessment_identifier"),
+                        F.lit(ASSESSMENT_SUBJECT).alias("assess_academic_subject"),
+                        F.lit(ASSESSMENT_SUBJECT).alias("academic_subject"),
                         F.col("o_orderpriority").alias("assessment_identifier"),
                         F.lit(ASSESSMENT_NAMESPACE).alias("namespace"),
                         F.col("code").alias("objective_assessment_identification_code"),
                         F.col("begin_date").alias("administration_date"))
 
+    @staticmethod
+    def _student_objective_key() -> Column:
+        return assessment_key(F.lower("code"), F.col("o_orderkey").cast("string"))
+
     def _stg_ef3__student_objective_assessments__score_results(self) -> DataFrame:
-        s = self("stg_ef3__student_objective_assessments")
-        o = self("orders_home").select(key("tenant_code", "o_orderkey").alias("k_student_assessment"), "o_totalprice",
-                                       "o_orderkey")
-        j = s.join(o, "k_student_assessment")
         res = F.explode(F.array(
             F.struct(F.lit("Raw Score").alias("n"), _mod(F.floor("o_totalprice"), 100).cast("string").alias("r")),
             F.struct(F.lit("Mastery").alias("n"), F.when(_mod("o_orderkey", 2) == 0, "Y").otherwise("N").alias("r"))))
-        x = j.select("*", res.alias("x"))
-        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"), "k_student_objective_assessment",
-                        "assessment_identifier", "namespace", "objective_assessment_identification_code",
+        x = self("objective_orders").select("*", res.alias("x"))
+        return x.select("tenant_code", F.lit(SCHOOL_YEAR).alias("api_year"),
+                        self._student_objective_key().alias("k_student_objective_assessment"),
+                        F.col("o_orderpriority").alias("assessment_identifier"), F.lit(ASSESSMENT_NAMESPACE).alias("namespace"),
+                        F.col("code").alias("objective_assessment_identification_code"),
                         F.col("x.n").alias("score_name"), F.col("x.r").alias("score_result"))
 
     def _stg_ef3__student_objective_assessments__performance_levels(self) -> DataFrame:
@@ -1274,41 +1314,6 @@ class Staging:
         return st.select(key("tenant_code", "staff_unique_id").alias("k_staff"), F.explode(races).alias("race"),
                          (_mod("c_custkey", 9) == 0).alias("has_hispanic_latino_ethnicity"))
 
-    # ---- program-specific stages (orders) -----------------------------------------------
-    def program_stage(self, program: str) -> DataFrame:
-        flt, col, expr = PROGRAM_STAGES[program]
-        o = self("orders_home").filter(F.expr(flt))
-        end = F.when(F.col("o_orderstatus") == "F", F.date_add("begin_date", 90))
-        return o.select("tenant_code", "school_year",
-                        key("tenant_code", "o_custkey", "school_year").alias("k_student"),
-                        key("tenant_code", "o_custkey").alias("k_student_xyear"),
-                        key("tenant_code", "o_orderpriority").alias("k_program"),
-                        key("tenant_code", "o_custkey", "o_orderkey").alias("k_student_program"),
-                        key("tenant_code", "home_school_id").alias("k_school"),
-                        F.col("begin_date").alias("program_enroll_begin_date"), end.alias("program_enroll_end_date"),
-                        F.col("o_orderpriority").alias("program_name"), F.expr(expr).alias(col))
-
-    def _stg_ef3__student_homeless_program_associations(self) -> DataFrame:
-        return self.program_stage("homeless")
-
-    def _stg_ef3__student_language_instruction_program_associations(self) -> DataFrame:
-        return self.program_stage("language_instruction")
-
-    def _stg_ef3__student_special_education_program_associations(self) -> DataFrame:
-        return self.program_stage("special_education")
-
-    def _stg_ef3__student_title_i_part_a_program_associations(self) -> DataFrame:
-        return self.program_stage("title_i_part_a")
-
-    def _stg_ef3__student_cte_program_associations(self) -> DataFrame:
-        return self.program_stage("cte")
-
-    def _stg_ef3__student_school_food_service_program_associations(self) -> DataFrame:
-        return self.program_stage("school_food_service")
-
-    def _stg_ef3__student_migrant_education_program_associations(self) -> DataFrame:
-        return self.program_stage("migrant_education")
-
     def _stg_ef3__discipline_actions__disciplines(self) -> DataFrame:
         a = self("stg_ef3__discipline_actions")
         d = F.explode(F.from_json("v_disciplines", "array<struct<disciplineDescriptor:string>>"))
@@ -1368,12 +1373,8 @@ class Staging:
         li = self.t("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_linestatus", "l_returnflag")
         o = self.t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
         pt = self.t("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
-        hs = self("home_school")
-        j = (li.join(o, "l_orderkey").join(pt, "l_partkey")
-             .join(hs.select(F.col("home_school_id").alias("stu_school"), "tenant_code"),
-                   _mod("o_custkey", self.n_home_schools) == F.col("stu_school"))
-             .join(hs.select(F.col("home_school_id").alias("part_school"), F.col("tenant_code").alias("part_tenant")),
-                   _mod("l_partkey", self.n_home_schools) == F.col("part_school")))
+        j = self._at_school(li.join(o, "l_orderkey").join(pt, "l_partkey"), "o_custkey", school="stu_school")
+        j = self._at_school(j, "l_partkey", school="part_school", tenant="part_tenant")
         period = F.when(_mod("l_linenumber", 2) == 0, F.lit(GRADING_PERIODS[0][0])).otherwise(F.lit(GRADING_PERIODS[1][0]))
         return j.select(
             "tenant_code", key("tenant_code", "o_custkey", F.lit(SCHOOL_YEAR)).alias("k_student"),
@@ -1400,7 +1401,8 @@ class Staging:
 
     def _stg_ef3__stu_spec_ed__disabilities(self) -> DataFrame:
         s = self("stg_ef3__student_special_education_program_associations").select(
-            "tenant_code", "school_year", "k_student_program", "k_student", "k_program")
+            "tenant_code", "school_year", "k_student_program", "k_student", "k_student_xyear", "k_program", "k_lea", "k_school",
+            "program_enroll_begin_date")
         o = self("orders_home").select(key("tenant_code", "o_custkey", "o_orderkey").alias("k_student_program"),
                                        "o_orderkey")
         j = s.join(o, "k_student_program")
@@ -1410,8 +1412,11 @@ class Staging:
             F.when(_mod("o_orderkey", 5) == 0, F.struct(F.lit("Another Disability").alias("t"), F.lit(1).alias("o")))),
             lambda x: x.isNotNull())
         x = j.select("*", F.explode(d).alias("d"))
-        return x.select("tenant_code", "school_year", "k_student_program", "k_student", "k_program",
-                        F.col("d.t").alias("disability_type"), F.col("d.o").alias("order_of_disability"))
+        return x.select("tenant_code", "school_year", "k_student_program", "k_student", "k_student_xyear", "k_program", "k_lea",
+                        "k_school", "program_enroll_begin_date", F.col("d.t").alias("disability_type"),
+                        F.when(_mod("o_orderkey", 2) == 0, F.lit("Parent")).alias("disability_source_type"),
+                        F.concat(F.lit("Diagnosis of "), F.lower("d.t")).alias("disability_diagnosis"),
+                        F.col("d.o").alias("order_of_disability"))
 
     def _stg_ef3__local_education_agencies__identification_codes(self) -> DataFrame:
         n = self("nation_tenant")
