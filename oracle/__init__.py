@@ -28,4 +28,9 @@ def final(name: str, source: str, bigint: tuple[str, ...] = (), double: tuple[st
     ORACLE[name] = assemble(f"SELECT {sel} FROM {source}", source)
 
 
-from . import queries  # noqa: E402,F401
+from . import constraints, queries  # noqa: E402,F401
+
+for _group in constraints.GROUPS:
+    for _kind, _sql in (("keys", constraints.keys_sql), ("references", constraints.references_sql)):
+        _text, _needs = _sql(_group)
+        ORACLE[f"dq_d3{2 if _kind == 'keys' else 3}_{_kind}_{_group}"] = assemble(_text, *sorted(_needs))

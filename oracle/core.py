@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .base import AS_OF, RATE, cte
+from .base import AS_OF, RATE, K, cte
 
 #: columns of dim_student by the build they come from
 CHARACTERISTICS = ["is_economic_disadvantaged", "is_gifted", "is_homeless_characteristic"]
@@ -20,27 +20,31 @@ SELECT DISTINCT s.tenant_code, s.k_lea
 FROM stg_calendars c JOIN stg_schools s ON c.tenant_code = s.tenant_code AND c.k_school = s.k_school""",
     "stg_calendars", "stg_schools")
 
-cte("o_dim_lea", """
-SELECT l.k_lea, l.tenant_code, l.lea_id, l.lea_name, l.lea_category
+cte("o_dim_lea", f"""
+SELECT l.k_lea, {K('l.tenant_code', "'esc'")} AS k_esc, l.tenant_code, l.lea_id, l.lea_name, l.lea_category,
+       a.address_type, a.street_address, a.city, a.postal_code
 FROM stg_leas l
+LEFT JOIN (SELECT n.tenant_code, CAST(n.n_nationkey AS VARCHAR) AS lea_id, t.t AS address_type,
+                  t.t || ' Ave ' || CAST(n.n_nationkey AS VARCHAR) AS street_address,
+                  array_to_string(list_transform(string_split(lower(n.n_name), ' '),
+                                                 lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') AS city,
+                  lpad(CAST(n.n_nationkey AS VARCHAR), 5, '0') AS postal_code
+           FROM nation_tenant n JOIN (VALUES ('Mailing'), ('Physical'), ('Billing')) t(t)
+             ON t.t = 'Mailing' OR (n.n_nationkey % 3 <> 0 AND t.t = CASE n.n_nationkey % 2 WHEN 0 THEN 'Physical' ELSE 'Billing' END)
+           QUALIFY row_number() OVER (PARTITION BY n.tenant_code, n.n_nationkey ORDER BY (t.t = 'Physical') DESC, t.t) = 1) a
+  ON l.tenant_code = a.tenant_code AND l.lea_id = a.lea_id
 WHERE EXISTS (SELECT 1 FROM o_tenant_lea_ownership o WHERE o.tenant_code = l.tenant_code AND o.k_lea = l.k_lea)""",
-    "stg_leas", "o_tenant_lea_ownership")
+    "stg_leas", "nation_tenant", "o_tenant_lea_ownership")
 
-cte("stg_school_addresses", """
-SELECT s.tenant_code, s.k_school, t.address_type,
-       t.address_type || ' Rd ' || CAST(s.school_id AS VARCHAR) AS street_address,
-       'City ' || CAST(s.school_id % 50 AS VARCHAR) AS city,
-       lpad(CAST(s.school_id % 100000 AS VARCHAR), 5, '0') AS postal_code
+cte("o_school_address", """
+SELECT s.k_school, t.address_type, t.address_type || ' Rd ' || CAST(s.school_id AS VARCHAR) AS street_address,
+       'City ' || CAST(s.school_id % 50 AS VARCHAR) AS city, lpad(CAST(s.school_id % 100000 AS VARCHAR), 5, '0') AS postal_code
 FROM stg_schools s
 JOIN (VALUES ('Physical'), ('Mailing'), ('Home')) t(address_type)
-  ON (t.address_type = 'Physical' AND s.school_id % 3 <> 0) OR t.address_type = 'Mailing'
-  OR (t.address_type = 'Home' AND s.school_id % 2 = 0)""", "stg_schools")
-
-cte("o_school_address", """
-SELECT k_school, address_type, street_address, city, postal_code FROM stg_school_addresses
-QUALIFY row_number() OVER (PARTITION BY k_school
-                           ORDER BY (address_type = 'Physical') DESC NULLS LAST, address_type ASC NULLS LAST) = 1""",
-    "stg_school_addresses")
+  ON (t.address_type = 'Physical' AND s.school_id % 3 <> 0 AND s.school_id % 4 <> 1) OR t.address_type = 'Mailing'
+  OR (t.address_type = 'Home' AND s.school_id % 2 = 0)
+QUALIFY row_number() OVER (PARTITION BY s.k_school ORDER BY (t.address_type = 'Physical') DESC, t.address_type ASC) = 1""",
+    "stg_schools")
 
 cte("stg_school_ids", """
 SELECT s.tenant_code, s.k_school, t.id_system, left(t.id_system, 1) || CAST(s.school_id AS VARCHAR) AS id_code
@@ -60,13 +64,14 @@ JOIN (VALUES ('NCES', 'nces'), ('State', 'state'), ('Local', 'local')) x(id_syst
 GROUP BY i.tenant_code, i.k_school""", "stg_school_ids")
 
 cte("o_dim_school", """
-SELECT s.k_school, s.k_lea, s.tenant_code, s.school_id, s.school_name, s.school_category, l.lea_name,
-       a.address_type, a.street_address, a.city, a.postal_code,
-       w.local_school_code, w.nces_school_code, w.state_school_code
+SELECT s.k_school, s.k_lea, n.k_network__charter, n.k_network__region, s.tenant_code, s.school_id,
+       w.local_school_code, w.nces_school_code, w.state_school_code, s.school_name, l.lea_name, l.lea_id, s.school_category,
+       a.address_type, a.street_address, a.city, a.postal_code
 FROM stg_schools s JOIN o_dim_lea l ON s.k_lea = l.k_lea
 LEFT JOIN o_school_address a ON s.k_school = a.k_school
-LEFT JOIN o_wide_ids_school w ON s.k_school = w.k_school""",
-    "stg_schools", "o_dim_lea", "o_school_address", "o_wide_ids_school")
+LEFT JOIN o_wide_ids_school w ON s.k_school = w.k_school
+LEFT JOIN o_wide_network n ON s.k_school = n.k_school""",
+    "stg_schools", "o_dim_lea", "o_school_address", "o_wide_ids_school", "o_wide_network")
 
 cte("o_dim_school_calendar", """
 SELECT c.k_school_calendar, c.k_school, c.tenant_code, c.school_year, c.calendar_code, c.calendar_type,

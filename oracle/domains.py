@@ -185,7 +185,7 @@ SELECT hs.tenant_code, 2024 AS school_year, {K('hs.tenant_code', 'o.o_custkey',
        {K('hs.tenant_code', 'hs.home_school_id', '2024',
           "CASE WHEN l.l_linenumber % 2 = 0 THEN 'Third Quarter' ELSE 'Fourth Quarter' END")} AS k_grading_period,
        CASE WHEN l.l_linestatus = 'F' THEN 'Final' ELSE 'Grading Period' END AS grade_type,
-       l.l_returnflag AS letter_grade_earned, l.l_quantity AS numeric_grade_earned
+       l.l_returnflag AS letter_grade_earned, l.l_quantity AS numeric_grade_earned, l.l_linenumber
 FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN home_school hs ON o.o_custkey % (SELECT count(*) FROM supplier) = hs.school_index
@@ -213,32 +213,35 @@ FROM events e JOIN home_school h ON e.user_id % (SELECT count(*) FROM supplier)
 WHERE e.event_type = 'error'""", "home_school")
 
 cte("stg_incident_behaviors", f"""
-SELECT {K('tenant_code', 'home_school_id', 'event_id')} AS k_discipline_incident, behavior_type, tenant_code,
-       home_school_id, event_id, user_id
-FROM error_events
-UNION ALL
-SELECT {K('tenant_code', 'home_school_id', 'event_id')}, 'Unlisted', tenant_code, home_school_id, event_id, user_id
-FROM error_events WHERE event_id % 7 = 0""", "error_events")
+SELECT *, CASE WHEN event_id % 3 = 0 THEN 'Seen by staff: ' || behavior_type END AS behavior_detailed_description
+FROM (SELECT {K('tenant_code', 'home_school_id', 'event_id')} AS k_discipline_incident, behavior_type, tenant_code,
+             home_school_id, event_id, user_id
+      FROM error_events
+      UNION ALL
+      SELECT {K('tenant_code', 'home_school_id', 'event_id')}, CASE WHEN event_id % 3 = 0 THEN behavior_type ELSE 'Unlisted' END,
+             tenant_code, home_school_id, event_id, user_id
+      FROM error_events WHERE event_id % 7 = 0)""", "error_events")
 
 cte("o_dim_discipline_incident", f"""
 SELECT {K('e.tenant_code', 'e.home_school_id', 'e.event_id')} AS k_discipline_incident,
        {K('e.tenant_code', 'e.home_school_id')} AS k_school, e.tenant_code, 2024 AS school_year,
-       CAST(e.event_id AS VARCHAR) AS incident_id, e.incident_date, e.value AS incident_cost,
-       (e.event_id % 4 = 0) AS was_reported_to_law_enforcement, b.behavior_array,
-       coalesce(len(b.behavior_array), 0) > 1 AS is_multiple_behaviors
+       CAST(e.event_id AS VARCHAR) AS incident_id, e.incident_date, e.event_id % 7 = 0 AS has_multiple_behaviors,
+       e.value AS incident_cost, (e.event_id % 4 = 0) AS was_reported_to_law_enforcement, b.behavior_array
 FROM error_events e
 JOIN o_dim_school s ON {K('e.tenant_code', 'e.home_school_id')} = s.k_school
-LEFT JOIN (SELECT k_discipline_incident, list_sort(list(DISTINCT behavior_type)) AS behavior_array
+LEFT JOIN (SELECT k_discipline_incident,
+                  list({{'behavior_type': behavior_type, 'behavior_detailed_description': behavior_detailed_description}})
+                    AS behavior_array
            FROM stg_incident_behaviors GROUP BY 1) b
   ON {K('e.tenant_code', 'e.home_school_id', 'e.event_id')} = b.k_discipline_incident""",
     "error_events", "o_dim_school", "stg_incident_behaviors")
 
 cte("stg_student_behaviors", f"""
 SELECT tenant_code, 2024 AS school_year, {K('tenant_code', 'user_id', '2024')} AS k_student,
-       {K('tenant_code', 'user_id')} AS k_student_xyear, k_discipline_incident, behavior_type,
+       {K('tenant_code', 'user_id')} AS k_student_xyear, k_discipline_incident, behavior_type, behavior_detailed_description,
        CAST(event_id AS VARCHAR) AS incident_id, CAST(home_school_id AS VARCHAR) AS school_id,
        {K('tenant_code', 'home_school_id')} AS k_school
-FROM stg_incident_behaviors""", "stg_incident_behaviors")
+FROM (SELECT DISTINCT * FROM stg_incident_behaviors)""", "stg_incident_behaviors")
 
 cte("stg_discipline_actions", f"""
 SELECT tenant_code, 2024 AS school_year, 2024 AS api_year, {K('tenant_code', 'user_id', '2024')} AS k_student,
@@ -295,18 +298,26 @@ FROM (
 ) t""", "stg_discipline_actions", "o_dim_student", "o_dim_school", "o_action_behaviors")
 
 cte("o_fct_incident_behaviors", f"""
-SELECT {K('b.k_student', 'b.k_discipline_incident', 'lower(b.behavior_type)')} AS k_student_discipline_incident_behavior,
-       b.k_student, b.k_student_xyear, b.k_discipline_incident, b.k_school, b.tenant_code, b.school_year,
-       b.incident_id, b.school_id, b.behavior_type, x.severity_order,
+SELECT b.k_student, b.k_student_xyear, b.k_school, b.k_discipline_incident,
+       {K('b.k_student', 'b.k_discipline_incident', 'lower(b.behavior_type)')} AS k_student_discipline_incident_behavior,
+       b.tenant_code, b.school_year, b.school_id, b.incident_id, b.behavior_type, b.behavior_detailed_description, true AS is_offender,
+       x.severity_order,
        CASE WHEN x.severity_order IS NOT NULL THEN
          row_number() OVER (PARTITION BY b.k_student, b.k_student_xyear, b.k_school, b.k_discipline_incident
                             ORDER BY x.severity_order DESC NULLS LAST, b.behavior_type ASC NULLS LAST) = 1 END
-         AS is_most_severe_behavior
+         AS is_most_severe_behavior,
+       x.behavior_group, CASE WHEN c.n IS NOT NULL THEN c.codes[1] END AS participation_code, c.codes AS participation_codes_array
 FROM stg_student_behaviors b
+LEFT JOIN (SELECT {K('tenant_code', 'user_id', '2024')} AS k_student, {K('tenant_code', 'home_school_id', 'event_id')} AS k_incident,
+                  1 AS n, CASE WHEN event_id % 2 = 0 THEN ['Accomplice', 'Perpetrator'] ELSE ['Perpetrator'] END AS codes
+           FROM error_events WHERE event_id % 2 = 0 OR event_id % 5 <> 0) c
+  ON b.k_student = c.k_student AND b.k_discipline_incident = c.k_incident
 JOIN o_dim_student s ON b.k_student = s.k_student
+JOIN o_dim_school h ON b.k_school = h.k_school
 JOIN o_dim_discipline_incident i ON b.k_discipline_incident = i.k_discipline_incident
-LEFT JOIN (VALUES ('Major', 3), ('Moderate', 2), ('Minor', 1)) x(behavior_type, severity_order)
-  ON b.behavior_type = x.behavior_type""", "stg_student_behaviors", "o_dim_student", "o_dim_discipline_incident")
+LEFT JOIN (VALUES ('Major', 3, 'Safety'), ('Moderate', 2, 'Conduct'), ('Minor', 1, 'Conduct'))
+     x(behavior_type, severity_order, behavior_group) ON b.behavior_type = x.behavior_type""",
+    "stg_student_behaviors", "error_events", "o_dim_student", "o_dim_school", "o_dim_discipline_incident")
 
 cte("o_q3", """
 SELECT entry_grade_level, count(DISTINCT k_student) AS n_students
@@ -506,7 +517,7 @@ FROM (SELECT tenant_code, staff_unique_id, 'Work' AS t,
       FROM staff_home WHERE c_custkey % 5 = 0) u""", "staff_home")
 
 cte("o_staff_emails", f"""
-SELECT *, regexp_matches(email_address, '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]+') AS is_valid_email
+SELECT *, regexp_matches(email_address, '^[a-zA-Z0-9_.''\\-]+[+]?[a-zA-Z0-9.-]*@[a-zA-Z0-9.\\-]+[.][a-zA-Z0-9]{{2,9}}') AS is_valid_email
 FROM (SELECT tenant_code, k_staff, CAST(NULL AS VARCHAR) AS k_lea, CAST(NULL AS VARCHAR) AS k_school, email_type,
              email_address
       FROM stg_staff_emails
@@ -518,28 +529,32 @@ FROM (SELECT tenant_code, k_staff, CAST(NULL AS VARCHAR) AS k_lea, CAST(NULL AS
 cte("o_staff_official_emails", """
 SELECT tenant_code, k_staff, email_type, email_address FROM o_staff_emails
 WHERE is_valid_email AND email_type IN ('Work')
-  AND (lower(split_part(email_address, '@', 2)) NOT IN ('gmail.com', 'yahoo.com', 'hotmail.com')
-       OR split_part(email_address, '@', 2) IS NULL)
+  AND split_part(email_address, '@', 2) NOT IN (
+    'aim.com', 'aol.com', 'att.net', 'gmail.com', 'yahoo.com', 'hotmail.com', 'msn.com', 'live.com', 'charter.net',
+    'earthlink.net', 'verizon.net', 'comcast.net', 'outlook.com')
 QUALIFY row_number() OVER (PARTITION BY k_staff, email_address ORDER BY email_type ASC NULLS LAST) = 1""",
     "o_staff_emails")
 
 cte("o_dim_staff", f"""
 SELECT {K('s.tenant_code', 's.staff_unique_id')} AS k_staff, s.tenant_code, s.staff_unique_id,
+       'Di' || s.staff_unique_id AS district_staff_id, 'St' || s.staff_unique_id AS state_staff_id,
        s.c_name AS first_name, CASE WHEN s.c_custkey % 3 = 0 THEN 'Lee' END AS middle_name,
        upper(left(s.c_mktsegment, 1)) || lower(substr(s.c_mktsegment, 2)) AS last_name,
-       upper(left(s.c_mktsegment, 1)) || lower(substr(s.c_mktsegment, 2)) || ', ' || s.c_name
-         || CASE WHEN s.c_custkey % 3 = 0 THEN ' L' ELSE '' END AS display_name,
-       e.email_address, e.email_type, s.home_school_id AS school_id
+       upper(left(s.c_mktsegment, 1)) || lower(substr(s.c_mktsegment, 2)) || ', ' || s.c_name AS display_name,
+       upper(left(s.c_mktsegment, 1)) || lower(substr(s.c_mktsegment, 2)) || ', ' || s.c_name || ' (' || s.staff_unique_id || ')'
+         AS safe_display_name,
+       e.email_address, e.email_type, r.race_ethnicity
 FROM staff_home s
-LEFT JOIN (SELECT * FROM o_staff_emails WHERE is_valid_email
+LEFT JOIN o_staff_race r ON {K('s.tenant_code', 's.staff_unique_id')} = r.k_staff
+LEFT JOIN (SELECT * FROM o_staff_emails
            QUALIFY row_number() OVER (PARTITION BY k_staff
                                       ORDER BY (email_type = 'Work') DESC NULLS LAST, email_type ASC NULLS LAST,
                                                email_address ASC NULLS LAST) = 1) e
-  ON {K('s.tenant_code', 's.staff_unique_id')} = e.k_staff""", "staff_home", "o_staff_emails")
+  ON {K('s.tenant_code', 's.staff_unique_id')} = e.k_staff""", "staff_home", "o_staff_emails", "o_staff_race")
 
 cte("o_fct_staff_section", f"""
 SELECT x.k_staff, x.k_course_section, c.k_school, x.tenant_code, x.school_year, x.begin_date, x.end_date,
-       x.classroom_position, {_ACTIVE_SEC} AS is_active_enrollment
+       x.classroom_position, {_ACTIVE_SEC} AS is_active_assignment
 FROM (SELECT s.tenant_code, 2024 AS school_year, {K('s.tenant_code', 's.staff_unique_id')} AS k_staff,
              {K('p.tenant_code', 'p.p_partkey', "'S1'")} AS k_course_section, DATE '2024-01-01' AS begin_date,
              CASE WHEN s.c_custkey % 5 = 0 THEN DATE '2024-01-20' END AS end_date,
@@ -697,8 +712,8 @@ def _repair(t: str) -> str:
 cte("o_class_periods_raw", f"""
 SELECT s.tenant_code, 2024 AS school_year, s.k_school, {K('s.tenant_code', 's.school_id', 'p.n')} AS k_class_period,
        p.n AS class_period_name, p.n = 'Period 1' AS is_official_attendance_period,
-       CASE WHEN s.school_id % 5 = 0 THEN 2 ELSE 1 END AS n_meeting_times,
-       {_repair('p.a')} AS start_time, {_repair('p.b')} AS end_time
+       CASE WHEN s.school_id % 5 <> 0 THEN {_repair('p.a')} END AS start_time,
+       CASE WHEN s.school_id % 5 <> 0 THEN {_repair('p.b')} END AS end_time
 FROM stg_schools s
 JOIN o_dim_school d ON s.k_school = d.k_school
 CROSS JOIN (VALUES ('Period 1', '08:00:00', '08:50:00'), ('Period 2', '11:30:00', '12:20:00'),
@@ -709,7 +724,7 @@ cte("o_dim_class_period", """
 SELECT *, date_diff('minute', CAST('1970-01-01 ' || start_time AS TIMESTAMP),
                     CASE WHEN CAST('1970-01-01 ' || start_time AS TIMESTAMP) > CAST('1970-01-01 ' || end_time AS TIMESTAMP)
                          THEN CAST('1970-01-01 ' || end_time AS TIMESTAMP) + INTERVAL 12 HOUR
-                         ELSE CAST('1970-01-01 ' || end_time AS TIMESTAMP) END) AS class_duration
+                         ELSE CAST('1970-01-01 ' || end_time AS TIMESTAMP) END) AS period_duration
 FROM o_class_periods_raw""", "o_class_periods_raw")
 
 cte("o_dim_cohort", f"""
@@ -723,7 +738,7 @@ SELECT a.k_student, s.k_student_xyear, a.k_cohort, a.tenant_code, a.school_year,
        a.cohort_end_date,
        CASE WHEN a.school_year = max(a.school_year) OVER (PARTITION BY a.tenant_code)
                  AND a.cohort_begin_date <= {AS_OF}
-                 AND (a.cohort_end_date IS NULL OR a.cohort_end_date >= {AS_OF}) THEN true ELSE false END AS is_active
+                 AND (a.cohort_end_date IS NULL OR a.cohort_end_date >= {AS_OF}) THEN true ELSE false END AS is_active_cohort_association
 FROM (SELECT tenant_code, 2024 AS school_year, {K('tenant_code', 'c_custkey', '2024')} AS k_student,
              {K('tenant_code', 'home_school_id', "CASE WHEN c_custkey % 2 = 0 THEN 'Class of 2030' ELSE 'Class of 2031' END")}
                AS k_cohort,
@@ -1008,7 +1023,7 @@ SELECT d.*, 2024 AS api_year, d.school_category = 'Elementary School' AS is_elem
     "o_dim_school")
 
 cte("o_dq_d17", """
-SELECT k_student, count(*) AS n_records, 'bld_student_indicators' AS source
+SELECT k_student, count(*) AS n_records, 'bld_student_indicators' AS data_source
 FROM o_student_indicators GROUP BY 1 HAVING count(*) > 1""", "o_student_indicators")
 
 # ---------------------------------------------------------------- networks
@@ -1075,9 +1090,8 @@ JOIN xwalk_attendance_events x ON e.attendance_event_category = x.attendance_eve
     "stg_section_events", "o_dim_student", "o_dim_course_section", "xwalk_attendance_events")
 
 cte("o_dq_d10", """
-SELECT v.attendance_event_category, v.n_records
-FROM (SELECT attendance_event_category, count(*) AS n_records FROM stg_section_events GROUP BY 1) v
-LEFT JOIN xwalk_attendance_events x ON v.attendance_event_category = x.attendance_event_descriptor
+SELECT DISTINCT s.tenant_code, s.school_year AS api_year, s.attendance_event_category
+FROM stg_section_events s LEFT JOIN xwalk_attendance_events x ON s.attendance_event_category = x.attendance_event_descriptor
 WHERE x.is_absent IS NULL""", "stg_section_events", "xwalk_attendance_events")
 
 cte("o_dq_d2", """
@@ -1125,19 +1139,20 @@ FROM (SELECT tenant_code, 2024 AS fiscal_year, {K('tenant_code', "'coa'", 'p_par
     for i, (d, m) in enumerate(_DIMS)), "part_home", "nation_tenant")
 
 cte("o_dim_esc", f"""
-SELECT e.k_esc, e.tenant_code, e.esc_id, e.esc_name, a.address_type, a.street_address
+SELECT e.*, a.address_type, a.street_address, a.city, a.postal_code
 FROM (SELECT r_name AS tenant_code, {K('r_name', "'esc'")} AS k_esc, CAST(r_regionkey AS VARCHAR) AS esc_id,
              array_to_string(list_transform(string_split(lower(r_name), ' '),
-                                            lambda w: upper(left(w, 1)) || substr(w, 2)), ' ')
-               || ' Service Center' AS esc_name, r_regionkey
+                                            lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') || ' Service Center' AS esc_name
       FROM region) e
-LEFT JOIN (SELECT {K('r_name', "'esc'")} AS k_esc,
-                  CASE WHEN r_regionkey % 2 = 0 THEN 'Physical' ELSE 'Billing' END AS address_type,
-                  CASE WHEN r_regionkey % 2 = 0 THEN 'Physical' ELSE 'Billing' END || ' Way '
-                    || CAST(r_regionkey AS VARCHAR) AS street_address
-           FROM region) a ON e.k_esc = a.k_esc""")
+LEFT JOIN (SELECT {K('r_name', "'esc'")} AS k_esc, t.t AS address_type, t.t || ' Way ' || CAST(r_regionkey AS VARCHAR) AS street_address,
+                  array_to_string(list_transform(string_split(lower(r_name), ' '),
+                                                 lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') AS city,
+                  lpad(CAST(r_regionkey AS VARCHAR), 5, '0') AS postal_code
+           FROM region JOIN (VALUES ('Mailing'), ('Physical'), ('Billing')) t(t)
+             ON t.t = 'Mailing' OR (t.t = 'Physical' AND r_regionkey % 2 = 0 AND r_regionkey <> 2)
+             OR (t.t = 'Billing' AND r_regionkey % 2 = 1)
+           QUALIFY row_number() OVER (PARTITION BY r_name ORDER BY (t.t = 'Physical') DESC, t.t) = 1) a ON e.k_esc = a.k_esc""")
 
-# ---------------------------------------------------------------- objective assessments
 cte("o_dim_objective_assessment", f"""
 SELECT {_asmt('a.', 'lower(c.code)', subjects=2)} AS k_objective_assessment, a.k_assessment,
        a.tenant_code, a.api_year AS school_year, a.assessment_identifier, a.namespace,
@@ -1325,10 +1340,9 @@ cte("o_dq_d9", """
 SELECT DISTINCT f.tenant_code, f.school_year, d.assessment_identifier, d.objective_assessment_identification_code
 FROM o_fct_student_objective f
 JOIN o_dim_objective_assessment d ON f.k_objective_assessment = d.k_objective_assessment
-WHERE NOT EXISTS (SELECT 1 FROM (VALUES ('1-URGENT', 'OBJ-A'), ('2-HIGH', 'OBJ-A'), ('1-URGENT', 'OBJ-B')) x(i, c)
-                  WHERE x.i = d.assessment_identifier AND x.c = d.objective_assessment_identification_code
-                    AND d.namespace = 'uri://rollcall.example/assessment')""",
-    "o_fct_student_objective", "o_dim_objective_assessment")
+LEFT JOIN (SELECT DISTINCT * FROM (VALUES ('1-URGENT', 'OBJ-A'), ('2-HIGH', 'OBJ-A'), ('1-URGENT', 'OBJ-B')) v(i, c)) x
+  ON d.assessment_identifier = x.i AND d.objective_assessment_identification_code = x.c
+WHERE x.c IS NULL""", "o_fct_student_objective", "o_dim_objective_assessment")
 
 cte("o_actions_summary", """
 WITH link AS (
@@ -1544,5 +1558,21 @@ FROM o_dim_course_section c LEFT JOIN o_course_char_wide w ON c.k_course_section
     "o_dim_course_section", "o_course_char_wide")
 
 cte("o_dq_d15", """
-SELECT k_course_section, count(*) AS n_records, 'bld_course_char__combined_wide' AS source
+SELECT k_course_section, count(*) AS n_records, 'bld_course_char__combined_wide' AS data_source
 FROM o_course_char_wide GROUP BY 1 HAVING count(*) > 1""", "o_course_char_wide")
+
+cte("o_fct_grades_custom", """
+SELECT g.k_student, g.k_course_section, g.k_school, g.k_grading_period, g.grade_type, g.tenant_code, g.school_year,
+       g.letter_grade_earned, g.numeric_grade_earned, x.unweighted_gpa_points, x.exclude_from_gpa, x.is_dorf,
+       x.grade_sort_index, CASE WHEN g.l_linenumber = 7 THEN NULL WHEN g.l_linenumber % 2 = 0 THEN 'A-F' ELSE '1-4' END AS grading_scale,
+       nullif(g.l_linenumber, 7) AS attempt
+FROM stg_grades g
+JOIN o_dim_student s ON g.k_student = s.k_student
+JOIN o_dim_school d ON g.k_school = d.k_school
+JOIN o_dim_grading_period p ON g.k_grading_period = p.k_grading_period
+JOIN o_dim_course_section c ON g.k_course_section = c.k_course_section
+LEFT JOIN xwalk_letter_grades x ON lower(g.letter_grade_earned) = x.letter_grade""",
+    "stg_grades", "o_dim_student", "o_dim_school", "o_dim_grading_period", "o_dim_course_section", "xwalk_letter_grades")
+
+cte("o_fct_homeless_program_custom", """
+SELECT *, '1-URGENT' AS program_name FROM o_fct_homeless_program""", "o_fct_homeless_program")

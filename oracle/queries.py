@@ -44,18 +44,18 @@ final("ds_dim_course_section", "o_dim_course_section", bigint=("school_year", "a
 final("ds_dim_grading_period", "o_dim_grading_period", bigint=("school_year", "period_sequence"))
 final("ds_fct_student_grades", "o_fct_grades", bigint=("school_year", "grade_sort_index"),
       double=("unweighted_gpa_points",))
-final("ds_dim_discipline_incident", "o_dim_discipline_incident", bigint=("school_year",), lists=("behavior_array",))
+final("ds_dim_discipline_incident", "o_dim_discipline_incident", bigint=("school_year",), json_lists=("behavior_array",))
 final("ds_stu_discipline_action__stu_incident_behavior", "o_action_behaviors",
       lists=("k_student_discipline_incident_behavior_array",))
 final("ds_fct_student_discipline_actions", "o_fct_discipline_actions", bigint=("school_year", "severity_order"),
       lists=("k_staff_array", "k_student_discipline_incident_behavior_array"))
 final("ds_fct_student_discipline_incident_behaviors", "o_fct_incident_behaviors",
-      bigint=("school_year", "severity_order"))
-final("dq_d4_attendance_event_codes", "o_dq_d4")
+      bigint=("school_year", "severity_order"), lists=("participation_codes_array",))
+final("dq_d4_attendance_event_codes", "o_dq_d4", bigint=("api_year",))
 final("dq_d5_behavior_types", "o_dq_d5")
-final("dq_d6_calendar_event_codes", "o_dq_d6")
+final("dq_d6_calendar_event_codes", "o_dq_d6", bigint=("api_year",))
 final("dq_d7_discipline_actions", "o_dq_d7")
-final("dq_d8_letter_grades", "o_dq_d8")
+final("dq_d8_letter_grades", "o_dq_d8", bigint=("api_year",))
 final("dq_d12_attendance_dates_without_calendar", "o_dq_d12")
 final("dq_d13_enrollments_with_ambiguous_calendars", "o_dq_d13", bigint=("school_year", "n_students_missing_calendar"),
       double=("pct_missing",))
@@ -97,7 +97,7 @@ final("dq_d14_students_with_multiple_primary_contacts", "o_dq_d14", bigint=("sch
 final("dq_d21_parent_association_multiple_years", "o_dq_d21")
 final("ds_student__other_names", "o_other_names", bigint=("api_year",))
 final("ds_student_indicators", "o_student_indicators", bigint=("api_year", "reading_level"))
-final("ds_dim_class_period", "o_dim_class_period", bigint=("school_year", "n_meeting_times", "class_duration"))
+final("ds_dim_class_period", "o_dim_class_period", bigint=("school_year", "period_duration"))
 final("ds_dim_cohort", "o_dim_cohort", bigint=("school_year",))
 final("ds_fct_student_cohort_association", "o_fct_cohort", bigint=("school_year",))
 final("ds_fct_student_academic_record", "o_fct_academic_record", bigint=("school_year", "cumulative_earned_credits"))
@@ -123,6 +123,9 @@ final("ds_fct_certification_exam_result", "o_fct_cert_result", bigint=("school_y
 final("ds_fct_candidate_staff_association", "o_fct_candidate_staff", bigint=("api_year",))
 final("ds_dim_student_custom", "o_dim_student_custom", bigint=("school_year", "grade_level_integer", "reading_level"),
       lists=("race_array",), json_lists=("cohort_year_array",))
+final("ds_fct_student_grades_custom", "o_fct_grades_custom", bigint=("school_year", "grade_sort_index", "attempt"),
+      double=("unweighted_gpa_points",))
+final("ds_fct_student_homeless_program_association_custom", "o_fct_homeless_program_custom", bigint=("school_year",))
 final("ds_dim_school_custom", "o_dim_school_custom", bigint=("api_year",))
 final("dq_d17_custom_student_sources_unique", "o_dq_d17")
 final("ds_dim_network", "o_dim_network")
@@ -131,7 +134,7 @@ final("ds_fct_student_program_participation_status", "o_participation_status")
 final("ds_fct_local_budget_snapshots", "o_fct_budgets", bigint=("fiscal_year",))
 final("ds_fct_student_section_attendance_event", "o_fct_section_events", bigint=("school_year",),
       double=("is_absent",))
-final("dq_d10_section_attendance_event_codes", "o_dq_d10")
+final("dq_d10_section_attendance_event_codes", "o_dq_d10", bigint=("api_year",))
 final("dq_d2_assessments_without_score_mapping", "o_dq_d2", bigint=("school_year",))
 final("ds_fct_course_transcripts", "o_fct_transcripts", bigint=("school_year",))
 final("ds_dim_chart_of_account", "o_dim_chart_of_account", bigint=("fiscal_year",))

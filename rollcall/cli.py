@@ -3,11 +3,13 @@
     python -m rollcall.cli run   --sf-dir DIR --out DIR [--as-of YYYY-MM-DD] [--select NAME ...]
     python -m rollcall.cli test  --sf-dir DIR --out DIR [--as-of YYYY-MM-DD] [--select CHECK ...]
 
-``run`` writes every registered dataset (or the selected ones) as a parquet
-table under ``--out`` in dependency order (S5): facts carrying a
-``school_year`` are partitioned by it, so downstream reads prune years.
-``test`` runs the checks, prints violation counts and appends the violating
-rows with check name, severity and run date to ``--out/_audit`` (S9).
+``run`` writes every table dataset (or the selected ones with what they read)
+below ``--out`` in dependency order, each once, facts and measures partitioned
+by school year and all tables clustered by tenant and year (S8).  They take the
+place of the tables of the run before when all are written (S5, see
+``sources.store``).  A table with a NULL in its grain stops the run before that.
+``test`` runs the checks and appends the violating rows, tagged with the run,
+to ``--out/_audit`` (S9); it prints how many this run found.
 """
 
 from __future__ import annotations
@@ -15,12 +17,14 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import uuid
 
 from .config import Config
 from .plans.registry import DATASETS, Warehouse, load_all
 from .session import build_session
-from .sources.sinks import audit, write_table
+from .sources.sinks import append_audit, audit
 from .sources.staging import Staging
+from .sources.store import Store
 
 
 def _config(args) -> Config:
@@ -30,20 +34,17 @@ def _config(args) -> Config:
 def run(args) -> dict:
     spark = build_session(args.master)
     load_all()
-    # dependencies are written straight into the output folder when first needed
-    wh = Warehouse(spark, Staging(spark, args.sf_dir), _config(args), table_root=args.out)
-    names = args.select or [n for n, d in DATASETS.items() if d.materialized == "table"]
-    out = {}
-    for n in names:
-        if n in wh._tables:  # already written as another dataset's input
-            out[n] = "written as a dependency"
-            continue
-        df = wh(n)
-        part = ("school_year",) if DATASETS[n].kind in ("fct", "msr") and "school_year" in df.columns else ()
-        write_table(df, f"{args.out}/{n}", partition_by=part)
-        wh.override(n, spark.read.parquet(f"{args.out}/{n}"))
-        out[n] = "written" + (" (partitioned by school_year)" if part else "")
-    return out
+    refresh = Store(spark, args.out).begin()
+    wh = Warehouse(spark, Staging(spark, args.sf_dir), _config(args), table_root=refresh.root, lay_out=True)
+    for n in args.select or [n for n, d in DATASETS.items() if d.materialized == "table" or d.kind == "qc"]:
+        wh.table(n)
+    broken = {n: seen for n, seen in wh.observed.items() if any(v for k, v in seen.items() if k.startswith("null:"))}
+    if broken:
+        raise SystemExit(f"NULLs in the grain, tables not taken over: {json.dumps(broken)}")
+    for n in wh.observed:
+        refresh.add(n)
+    refresh.finish()
+    return {n: seen["rows"] for n, seen in wh.observed.items()}
 
 
 def test(args) -> dict:
@@ -51,15 +52,10 @@ def test(args) -> dict:
     spark = build_session(args.master)
     load_all()
     cfg = _config(args)
-    wh = Warehouse(spark, Staging(spark, args.sf_dir), cfg, table_root=f"{args.out}/_check_inputs")
-    counts = {}
-    for name in args.select or list(CHECKS):
-        chk = CHECKS[name]
-        v = chk.fn(wh)
-        rows = audit(v, name, chk.severity, cfg.as_of)
-        rows.write.mode("append").parquet(f"{args.out}/_audit")
-        counts[name] = spark.read.parquet(f"{args.out}/_audit").filter(f"check_name = '{name}'").count()
-    return counts
+    wh = Warehouse(spark, Staging(spark, args.sf_dir), cfg, table_root=f"{args.out}/_check_inputs/{uuid.uuid4().hex}")
+    run_id = uuid.uuid4().hex
+    return {name: append_audit(audit(CHECKS[name].fn(wh), name, CHECKS[name].severity, cfg.as_of, run_id), f"{args.out}/_audit")
+            for name in args.select or list(CHECKS)}
 
 
 def main(argv=None) -> None:

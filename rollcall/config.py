@@ -84,7 +84,10 @@ class Config:
     # staff
     preferred_staff_email: str = "Work"
     official_email_types: tuple[str, ...] = ("Work",)
-    banned_email_domains: tuple[str, ...] = ("gmail.com", "yahoo.com", "hotmail.com")
+    # fixed values: personal e-mail domains, matched as they are written
+    banned_email_domains: tuple[str, ...] = (
+        "aim.com", "aol.com", "att.net", "gmail.com", "yahoo.com", "hotmail.com", "msn.com", "live.com", "charter.net",
+        "earthlink.net", "verizon.net", "comcast.net", "outlook.com")
 
     # assessments: copy results to all tenants a student is enrolled in; a relation with the k_student of
     # students left out of it (then the identity guard is off)
@@ -147,7 +150,9 @@ CUSTOM_CONFIG = Config(
         "dim_course_section": (("bld_course_char__combined_wide", "is_honors_section",
                                 "coalesce(bld_course_char__combined_wide.is_honors, false)"),),
     },
-    extensions={"stg_ef3__schools": ("api_year",)},
+    extensions={"stg_ef3__schools": ("api_year",),
+                "stg_ef3__grades": (("grading_scale", "$.grading.scale", "string"), ("attempt", "$.attempts[0]", "int")),
+                "stg_ef3__student_homeless_program_associations": ("program_name",)},
     cross_tenant_assessments=True,
     domains=("assessment", "cohort", "discipline", "esc", "homeless", "language_instruction", "special_ed", "title_i", "cte",
              "migrant_education"),

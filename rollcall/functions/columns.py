@@ -104,6 +104,17 @@ def minutes_between(start, end) -> Column:
     return F.timestamp_diff("MINUTE", s, e)
 
 
+def json_items(col) -> Column:
+    """the elements of a JSON list, each read by path later; NULL if the
+    text is no list."""
+    return F.try_variant_get(F.try_parse_json(_c(col)), "$", "array<variant>")
+
+
+def json_size(col) -> Column:
+    """number of elements of a JSON list, 0 if there is none."""
+    return F.coalesce(F.size(json_items(col)), F.lit(0))
+
+
 def race_label(is_hispanic, races, hispanic_code: str, multiple_code: str, unknown_code: str) -> Column:
     """hispanic flag first, then several races, then the one race, else unknown."""
     races = _c(races)

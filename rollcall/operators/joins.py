@@ -10,6 +10,7 @@ construction (seed crosswalks).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,37 @@ def wildcard_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return out
 
 
+def optional_key_join(left: DataFrame, xwalk: DataFrame, optional: Sequence[tuple[str, str]], payload: Sequence[str]) -> DataFrame:
+    """J11 without mandatory keys: every pair ``(left column, crosswalk column)``
+    is matched, or skipped where the crosswalk has NULL.  Left join: rows of
+    ``left``, once per match, with the ``payload`` columns, NULL without a match.
+
+    The crosswalk (a seed) is split by which of its keys are NULL.  Each part is
+    one equi join; the part without any key goes along with every row as a
+    literal array.  So no part needs a nested loop over ``left``.
+    """
+    given = [F.col(x).isNotNull().alias(f"g{i}") for i, (_, x) in enumerate(optional)]
+    parts, lost = [], left
+    for pattern in xwalk.select(*given).distinct().collect():
+        same = [c if p else ~c for c, p in zip([F.col(x).isNotNull() for _, x in optional], pattern, strict=True)]
+        own = xwalk.filter(reduce(lambda a, b: a & b, same))
+        keys = [pair for pair, p in zip(optional, pattern, strict=True) if p]
+        if not keys:
+            rows = own.select(*payload).collect()
+            each = F.array(*[F.struct(*[F.lit(r[p]).cast(own.schema[p].dataType).alias(p) for p in payload]) for r in rows])
+            parts.append(left.select("*", F.inline(each)))
+            lost = lost.filter(F.lit(False))
+            continue
+        theirs = own.select(*[F.col(x).alias(f"__x{i}") for i, (_, x) in enumerate(keys)], *payload)
+        on = reduce(lambda a, b: a & b, [left[c] == F.col(f"__x{i}") for i, (c, _) in enumerate(keys)])
+        marks = [f"__x{i}" for i in range(len(keys))]
+        parts.append(left.join(seed(theirs), on).drop(*marks))
+        anti = reduce(lambda a, b: a & b, [lost[c] == F.col(f"__x{i}") for i, (c, _) in enumerate(keys)])
+        lost = lost.join(seed(theirs.select(*marks).distinct()), anti, "left_anti")
+    parts.append(lost.select("*", *[F.lit(None).cast(xwalk.schema[p].dataType).alias(p) for p in payload]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def eq_null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     """Null-safe equality on several column pairs (still hashes)."""
     cond = F.lit(True)

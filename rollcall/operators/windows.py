@@ -21,20 +21,22 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def streaks(df: DataFrame, partition_by: Sequence[str], status: str, order_col: str,
-            counter: str, streak_id: str = "__rc_streak") -> DataFrame:
+def streaks(df: DataFrame, partition_by: Sequence[str], status: str, order_col: str, counter: str) -> DataFrame:
     """W4 gaps-and-islands: ``counter`` = position of the row inside its run of
     equal ``status`` values, ordered by ``order_col``.
 
-    run id = dense_rank over the partition - dense_rank within the status;
-    the counter is dense_rank within (partition, run id, status).
+    A row starts a run where its status differs from the row before (``lag``);
+    its position in the run is its rank less that of the run's first row, the
+    greatest rank of a start so far.  All of it runs in one order, that of the
+    running totals, so it adds no sort to theirs.
     """
-    p = _cols(partition_by)
-    all_rank = F.dense_rank().over(Window.partitionBy(*p).orderBy(order_col))
-    status_rank = F.dense_rank().over(Window.partitionBy(*p, F.col(status)).orderBy(order_col))
-    out = df.withColumn(streak_id, all_rank - status_rank)
-    w = Window.partitionBy(*p, F.col(streak_id), F.col(status)).orderBy(order_col)
-    return out.withColumn(counter, F.dense_rank().over(w))
+    w = Window.partitionBy(*_cols(partition_by)).orderBy(order_col)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rank, before = F.dense_rank().over(w), F.lag(F.struct(status)).over(w)
+    out = df.withColumn("__rc_rank", rank).withColumn(
+        "__rc_start", F.when(before.isNull() | ~F.col(status).eqNullSafe(before[status]), F.col("__rc_rank")))
+    first = F.max("__rc_start").over(so_far)
+    return out.withColumn(counter, F.col("__rc_rank") - first + 1).drop("__rc_rank", "__rc_start")
 
 
 def running_sum(col, partition_by: Sequence[str], order_col: str) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import day_count_in_range, within_end_date
 from ..functions.metrics import band_lookup, chronic_absentee, rate_pct
-from ..operators.dedupe import deduplicate
+from ..operators.dedupe import deduplicate, first_by
 from ..operators.joins import seed
 from ..operators.windows import partition_sum, running_sum, streaks
 from ..sources.seeds import ABSENTEE_CATEGORIES
@@ -56,13 +56,11 @@ def fct_student_school_attendance_event(wh) -> DataFrame:
                & within_end_date(cd.calendar_date, j.exit_withdraw_date, coalesce_to=today))
     j = j.join(xw, j.attendance_event_category == xw.attendance_event_descriptor)
     j = j.withColumn("attendance_excusal_status", excusal)
-    d = deduplicate(j, ["k_student", "k_school", "k_calendar_date"], [
-        F.col("enrollment_length").desc_nulls_first(), F.col("entry_date").desc_nulls_first(),
-        F.col("exit_withdraw_date").desc_nulls_first(),
+    d = first_by(j, ["k_student", "k_school", "k_calendar_date"], [
+        ("enrollment_length", "desc nulls first"), ("entry_date", "desc nulls first"), ("exit_withdraw_date", "desc nulls first"),
         # tie-break so the kept event is deterministic
-        F.col("attendance_event_category").asc_nulls_last(), F.col("k_session").asc_nulls_last(),
-        F.col("attendance_event_reason").asc_nulls_last(), F.col("event_duration").asc_nulls_last(),
-        F.col("arrival_time").asc_nulls_last()])
+        ("attendance_event_category", "asc nulls last"), ("k_session", "asc nulls last"),
+        ("attendance_event_reason", "asc nulls last"), ("event_duration", "asc nulls last"), ("arrival_time", "asc nulls last")])
     return d.select("k_student", "k_student_xyear", "k_school", "k_calendar_date", "k_session", "tenant_code",
                     "school_year", "calendar_date", "attendance_event_category", "attendance_event_reason",
                     "is_absent", "attendance_excusal_status", "event_duration", "school_attendance_duration",
@@ -95,7 +93,7 @@ def fct_student_daily_attendance(wh) -> DataFrame:
                                          "calendar_date", "is_school_day")
     cal_days = cal.select("k_calendar_date", "k_school", "school_year", "calendar_date")
 
-    submitted = (att.select("k_calendar_date").join(cal_days, "k_calendar_date")
+    submitted = (att.select("k_calendar_date").distinct().join(cal_days, "k_calendar_date")
                  .groupBy("k_school", "school_year").agg(F.max("calendar_date").alias("max_date_by_school")))
     cal_end = cal.groupBy("k_school", "school_year").agg(F.max("calendar_date").alias("max_calendar_date"))
     att_cal = (cal.join(submitted, ["k_school", "school_year"]).join(cal_end, ["k_school", "school_year"])
@@ -113,8 +111,7 @@ def fct_student_daily_attendance(wh) -> DataFrame:
     cal_fill = att_cal.join(
         fill, (att_cal.k_school == fill.__f_school)
         & att_cal.calendar_date.between(fill.session_begin_date, fill.session_end_date), "left")
-    cal_fill = deduplicate(cal_fill, ["k_calendar_date"], [F.col("__f_days").asc_nulls_last(),
-                                                          F.col("__f_session").asc_nulls_last()])
+    cal_fill = first_by(cal_fill, ["k_calendar_date"], [("__f_days", "asc nulls last"), ("__f_session", "asc nulls last")])
     cal_fill = cal_fill.select("k_school_calendar", "k_calendar_date", "school_year", "calendar_date",
                                "__f_session", "__f_days")
 

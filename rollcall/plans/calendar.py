@@ -84,23 +84,22 @@ def dim_session(wh) -> DataFrame:
         "session_begin_date", "session_end_date", "total_instructional_days")
 
 
-_MEETING_TIMES = "array<struct<startTime:string,endTime:string>>"
-
-
 @dataset("dim_class_period", grain=("k_class_period",))
 def dim_class_period(wh) -> DataFrame:
-    """Class periods at known schools (J1): first meeting time from the JSON
-    list (F22), 12-hour times repaired (F14), minutes between (F15), the JSON
-    passthrough dropped (P3)."""
-    from ..functions.columns import minutes_between, repair_time
-    p = wh("stg_ef3__class_periods")
-    mt = F.from_json("v_meeting_times", _MEETING_TIMES)
-    p = (p.join(wh("dim_school").select("k_school"), "k_school")
-         .withColumn("n_meeting_times", F.size(mt))
-         .withColumn("start_time", repair_time(F.get(mt, 0)["startTime"]))
-         .withColumn("end_time", repair_time(F.get(mt, 0)["endTime"])))
-    p = p.withColumn("class_duration", minutes_between("start_time", "end_time"))
-    return p.drop("v_meeting_times")
+    """Class periods at known schools (J1).  Times are read by path from the JSON
+    list of meetings where it has exactly one (F22), else NULL; 12-hour times
+    repaired (F14), minutes between (F15), the JSON dropped (P3)."""
+    from ..functions.columns import json_items, json_size, minutes_between, repair_time
+    from .custom import add_custom_columns
+
+    def time(path: str):
+        one = F.when(json_size("v_meeting_times") == 1, F.get(json_items("v_meeting_times"), F.lit(0)))
+        return repair_time(F.try_variant_get(one, path, "string"))
+    p = wh("stg_ef3__class_periods").join(wh("dim_school").select("k_school"), "k_school")
+    p = p.withColumn("start_time", time("$.startTime")).withColumn("end_time", time("$.endTime"))
+    out = p.select("k_class_period", "k_school", "tenant_code", "school_year", "class_period_name", "is_official_attendance_period",
+                   "start_time", "end_time", minutes_between("start_time", "end_time").alias("period_duration"))
+    return add_custom_columns(wh, "dim_class_period", out, ["k_class_period"])
 
 
 @dataset("dim_cohort", grain=("k_cohort",))
@@ -123,4 +122,4 @@ def fct_student_cohort_association(wh) -> DataFrame:
     active = F.col("__latest") & (F.col("cohort_begin_date") <= today) & (
         F.col("cohort_end_date").isNull() | (F.col("cohort_end_date") >= today))
     return s.select("k_student", "k_student_xyear", "k_cohort", "tenant_code", "school_year", "cohort_begin_date",
-                    "cohort_end_date", iff(active, True, False).alias("is_active"))
+                    "cohort_end_date", iff(active, True, False).alias("is_active_cohort_association"))

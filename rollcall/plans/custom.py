@@ -35,10 +35,27 @@ def add_custom_columns(wh, dataset: str, df: DataFrame, key: Sequence[str]) -> D
     return out.select(*[F.col(f"__base.{c}").alias(c) for c in df.columns], *extra)
 
 
+def extension_columns(wh, staging: str) -> list:
+    """The extension columns configured for a staging relation: one that it
+    has, by name, or ``(name, path, type)`` read from its JSON column ``v_ext``."""
+    out = []
+    for spec in wh.config.extensions.get(staging, ()):
+        if isinstance(spec, str):
+            out.append(F.col(spec))
+        else:
+            name, path, kind = spec
+            out.append(F.try_variant_get(F.try_parse_json("v_ext"), path, kind).alias(name))
+    return out
+
+
+def extension_names(wh, staging: str) -> list[str]:
+    return [spec if isinstance(spec, str) else spec[0] for spec in wh.config.extensions.get(staging, ())]
+
+
 def add_extensions(wh, staging: str, df: DataFrame) -> DataFrame:
-    """Configured extension columns of a staging relation, passed through as is."""
-    cols = list(wh.config.extensions.get(staging, ()))
-    return df.select(*df.columns, *[F.col(c) for c in cols if c not in df.columns])
+    """A staging relation with its configured extension columns."""
+    more = [c for c, n in zip(extension_columns(wh, staging), extension_names(wh, staging), strict=True) if n not in df.columns]
+    return df.select("*", *more)
 
 
 def custom_source_duplicates(wh, dataset: str, key: Sequence[str]) -> DataFrame:
@@ -46,10 +63,10 @@ def custom_source_duplicates(wh, dataset: str, key: Sequence[str]) -> DataFrame:
     out = None
     for source in sorted({s for s, _c, _e in wh.config.custom_columns.get(dataset, ()) if s}):
         d = (wh(source).groupBy(*key).agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1)
-             .withColumn("source", F.lit(source)))
+             .withColumn("data_source", F.lit(source)))
         out = d if out is None else out.unionByName(d)
     if out is None:
-        schema = ", ".join(f"{k} string" for k in key) + ", n_records bigint, source string"
+        schema = ", ".join(f"{k} string" for k in key) + ", n_records bigint, data_source string"
         return wh.spark.createDataFrame([], schema)
     return out
 
@@ -59,11 +76,16 @@ def custom_course_section_sources_unique(wh) -> DataFrame:
     return custom_source_duplicates(wh, "dim_course_section", ["k_course_section"])
 
 
-@check("d16_custom_school_sources_unique", "error")
+@check("custom_school_sources_unique", "error")
 def custom_school_sources_unique(wh) -> DataFrame:
     return custom_source_duplicates(wh, "dim_school", ["k_school"])
 
 
+@check("d16_custom_course_sources_unique", "error")
+def custom_course_sources_unique(wh) -> DataFrame:
+    return custom_source_duplicates(wh, "dim_course", ["k_course"])
+
+
 @check("d17_custom_student_sources_unique", "error")
 def custom_student_sources_unique(wh) -> DataFrame:
     return custom_source_duplicates(wh, "dim_student", ["k_student"])

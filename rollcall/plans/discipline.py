@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import descriptor_short
+from ..functions.columns import descriptor_short, json_size
 from ..functions.keys import surrogate_key
 from ..operators.dedupe import deduplicate, flag_first
 from ..operators.joins import seed, wildcard_condition
-from ..operators.sets import sorted_array, sorted_distinct_array
+from ..operators.sets import sorted_array, sorted_distinct_array, sorted_struct_array
 from .registry import dataset
 
 _DISCIPLINES = "array<struct<disciplineDescriptor:string>>"
@@ -18,15 +18,16 @@ _STAFFS = "array<struct<staffReference:struct<staffUniqueId:string>>>"
 
 @dataset("dim_discipline_incident", grain=("k_discipline_incident",), domain="discipline")
 def dim_discipline_incident(wh) -> DataFrame:
-    """Incidents at known schools (J1) with their distinct behaviors (A12) and
-    a several-behaviors flag (F22 size)."""
+    """Incidents at known schools (J1) with their behaviors as an array of
+    objects (A14), and whether the source lists several (F22: the size of its
+    JSON list, whatever objects are in it)."""
     inc = wh("stg_ef3__discipline_incidents")
     beh = (wh("stg_ef3__discipline_incidents__behaviors").groupBy("k_discipline_incident")
-           .agg(sorted_distinct_array("behavior_type").alias("behavior_array")))
+           .agg(sorted_struct_array("behavior_type", "behavior_detailed_description").alias("behavior_array")))
     j = inc.join(wh("dim_school").select("k_school"), "k_school").join(beh, "k_discipline_incident", "left")
     return j.select("k_discipline_incident", "k_school", "tenant_code", "school_year", "incident_id", "incident_date",
-                    "incident_cost", "was_reported_to_law_enforcement", "behavior_array",
-                    (F.coalesce(F.size("behavior_array"), F.lit(0)) > 1).alias("is_multiple_behaviors"))
+                    (json_size("v_behaviors") > 1).alias("has_multiple_behaviors"), "incident_cost",
+                    "was_reported_to_law_enforcement", "behavior_array")
 
 
 @dataset("bld_stu_discipline_action__stu_incident_behavior", domain="discipline",
@@ -97,21 +98,28 @@ def fct_student_discipline_actions(wh) -> DataFrame:
 @dataset("fct_student_discipline_incident_behaviors", domain="discipline",
          grain=("k_student", "k_discipline_incident", "behavior_type"))
 def fct_student_discipline_incident_behaviors(wh) -> DataFrame:
-    """Offender behaviors of known students and incidents (J1), severity from
-    the crosswalk (J2), most-severe flag per student and incident (W3)."""
+    """Offender behaviors of known students, schools and incidents (J1), severity
+    and further columns from the crosswalk (J2), participation codes (A12),
+    most-severe flag per student and incident (W3)."""
     b = wh("stg_ef3__student_discipline_incident_behavior_associations")
-    stu = wh("dim_student").select("k_student")
-    inc = wh("dim_discipline_incident").select("k_discipline_incident")
-    xw = seed(wh("xwalk_discipline_behaviors"))
-    j = b.join(stu, "k_student").join(inc, "k_discipline_incident").join(xw, "behavior_type", "left")
+    who = ["k_student", "k_student_xyear", "k_discipline_incident"]
+    codes = (wh("stg_ef3__student_discipline_incident_behavior_associations__participation_codes").groupBy(*who)
+             .agg(sorted_distinct_array("participation_code").alias("participation_codes_array")))
+    xw = wh("xwalk_discipline_behaviors")
+    more = [c for c in xw.columns if c not in ("behavior_type", "severity_order")]
+    j = (b.join(codes, who, "left").join(wh("dim_student").select("k_student"), "k_student")
+         .join(wh("dim_school").select("k_school"), "k_school")
+         .join(wh("dim_discipline_incident").select("k_discipline_incident"), "k_discipline_incident")
+         .join(seed(xw), "behavior_type", "left"))
     j = flag_first(j, "is_most_severe_behavior", ["k_student", "k_student_xyear", "k_school", "k_discipline_incident"],
                    [F.col("severity_order").desc_nulls_last(), F.col("behavior_type").asc_nulls_last()])
     j = j.withColumn("is_most_severe_behavior", F.when(F.col("severity_order").isNotNull(), F.col("is_most_severe_behavior")))
-    return j.select(surrogate_key("k_student", "k_discipline_incident", F.lower("behavior_type"))
-                    .alias("k_student_discipline_incident_behavior"),
-                    "k_student", "k_student_xyear", "k_discipline_incident", "k_school", "tenant_code",
-                    "school_year", "incident_id", "school_id", "behavior_type", "severity_order",
-                    "is_most_severe_behavior")
+    return j.select("k_student", "k_student_xyear", "k_school", "k_discipline_incident",
+                    surrogate_key("k_student", "k_discipline_incident", F.lower("behavior_type"))
+                    .alias("k_student_discipline_incident_behavior"), "tenant_code", "school_year", "school_id", "incident_id",
+                    "behavior_type", "behavior_detailed_description", F.lit(True).alias("is_offender"), "severity_order",
+                    "is_most_severe_behavior", *more, F.get("participation_codes_array", F.lit(0)).alias("participation_code"),
+                    "participation_codes_array")
 
 
 @dataset("fct_student_discipline_actions_summary", domain="discipline",

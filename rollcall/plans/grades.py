@@ -47,7 +47,8 @@ def fct_student_grades(wh) -> DataFrame:
     The big input (line items x orders) joins the dimensions by key; the
     dimensions are small enough for AQE to broadcast at run time.
     """
-    g = wh("stg_ef3__grades")
+    from .custom import add_extensions, extension_names
+    g = add_extensions(wh, "stg_ef3__grades", wh("stg_ef3__grades"))
     stu = wh("dim_student").select("k_student")
     sch = wh("dim_school").select("k_school")
     gp = wh("dim_grading_period").select("k_grading_period")
@@ -57,7 +58,7 @@ def fct_student_grades(wh) -> DataFrame:
     j = j.join(xw, F.lower(j.letter_grade_earned) == xw.letter_grade, "left")
     return j.select("k_student", "k_course_section", "k_school", "k_grading_period", "grade_type", "tenant_code",
                     "school_year", "letter_grade_earned", "numeric_grade_earned", "unweighted_gpa_points",
-                    "exclude_from_gpa", "is_dorf", "grade_sort_index")
+                    "exclude_from_gpa", "is_dorf", "grade_sort_index", *extension_names(wh, "stg_ef3__grades"))
 
 
 _CHARS = "array<struct<courseLevelCharacteristicDescriptor:string>>"

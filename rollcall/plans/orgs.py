@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import row_pluck
+from ..operators.dedupe import first_by, row_pluck
 from ..operators.joins import seed
 from ..operators.reshape import crosswalk_values, pivot_values
+from .custom import add_custom_columns, add_extensions, extension_names
 from .registry import dataset
 
 
@@ -24,16 +25,23 @@ def dim_lea(wh) -> DataFrame:
     """Districts that their tenant owns (J1 on ownership)."""
     lea = wh("stg_ef3__local_education_agencies")
     own = wh("bld_tenant_lea_ownership")
-    return lea.join(own, ["tenant_code", "k_lea"], "left_semi").select(
-        "k_lea", "tenant_code", "lea_id", "lea_name", "lea_category")
+    address = current_address(wh, "stg_ef3__local_education_agencies__addresses", "k_lea")
+    esc = ["k_esc"] if wh.config.enabled("esc") else []
+    return lea.join(own, ["tenant_code", "k_lea"], "left_semi").join(address, "k_lea", "left").select(
+        "k_lea", *esc, "tenant_code", "lea_id", "lea_name", "lea_category", *ADDRESS)
+
+
+ADDRESS = ("address_type", "street_address", "city", "postal_code")
+
+
+def current_address(wh, addresses: str, key: str) -> DataFrame:
+    """R2: of the addresses that haven't ended the Physical one, else the first type alphabetically."""
+    return row_pluck(wh(addresses), key, "address_type", "Physical", where=F.col("address_end_date").isNull()).select(key, *ADDRESS)
 
 
 @dataset("bld_school_address", grain=("k_school",))
 def school_address(wh) -> DataFrame:
-    """R2: the school's Physical address if it has one, else the first type alphabetically."""
-    a = wh("stg_ef3__schools__addresses")
-    return row_pluck(a, "k_school", "address_type", "Physical").select(
-        "k_school", "address_type", "street_address", "city", "postal_code")
+    return current_address(wh, "stg_ef3__schools__addresses", "k_school")
 
 
 @dataset("bld_wide_ids_school", grain=("tenant_code", "k_school"))
@@ -49,19 +57,17 @@ def wide_ids_school(wh) -> DataFrame:
 
 @dataset("dim_school", grain=("k_school",))
 def dim_school(wh) -> DataFrame:
-    """Schools of known districts (J1), with the district name, preferred
-    address and wide id codes (J2)."""
-    sch = wh("stg_ef3__schools")
-    lea = wh("dim_lea").select("k_lea", "lea_name")
-    addr = wh("bld_school_address")
+    """Schools of known districts (J1), with the district's name and id, networks,
+    current address and wide id codes (J2)."""
+    sch = add_extensions(wh, "stg_ef3__schools", wh("stg_ef3__schools"))
+    lea = wh("dim_lea").select("k_lea", "lea_name", "lea_id")
     ids = wh("bld_wide_ids_school").drop("tenant_code")
-    id_cols = [c for c in ids.columns if c != "k_school"]
-    from .custom import add_custom_columns, add_extensions
-    sch = add_extensions(wh, "stg_ef3__schools", sch)
-    ext = [c for c in sch.columns if c in wh.config.extensions.get("stg_ef3__schools", ())]
-    out = (sch.join(lea, "k_lea", "inner").join(addr, "k_school", "left").join(ids, "k_school", "left")
-           .select("k_school", "k_lea", "tenant_code", "school_id", "school_name", "school_category", "lea_name",
-                   "address_type", "street_address", "city", "postal_code", *id_cols, *ext))
+    networks = wh("bld_wide_school_network_assoc").drop("tenant_code")
+    out = (sch.join(lea, "k_lea").join(wh("bld_school_address"), "k_school", "left").join(ids, "k_school", "left")
+           .join(networks, "k_school", "left")
+           .select("k_school", "k_lea", *[c for c in networks.columns if c != "k_school"], "tenant_code", "school_id",
+                   *[c for c in ids.columns if c != "k_school"], "school_name", "lea_name", "lea_id", "school_category", *ADDRESS,
+                   *extension_names(wh, "stg_ef3__schools")))
     return add_custom_columns(wh, "dim_school", out, ["k_school"])
 
 
@@ -76,11 +82,10 @@ def dim_network(wh) -> DataFrame:
 def wide_school_network_assoc(wh) -> DataFrame:
     """Latest association per (school, network purpose), open end
     dates first, then pivoted to ``k_network__{type}`` through the crosswalk."""
-    from ..operators.dedupe import deduplicate
     a = wh("stg_ef3__education_organization_network_associations")
     j = a.join(wh("dim_network").select("k_network", "network_purpose"), "k_network")
-    d = deduplicate(j, ["k_school", "network_purpose"], [
-        F.col("end_date").desc_nulls_first(), F.col("begin_date").desc_nulls_first(), F.col("k_network").asc()])
+    d = first_by(j, ["k_school", "network_purpose"], [
+        ("end_date", "desc nulls first"), ("begin_date", "desc nulls first"), ("k_network", "asc nulls first")])
     xw = seed(wh("xwalk_network_association_types")).filter(F.col("association_type") == "school")
     d = d.join(xw, "network_purpose")
     types = crosswalk_values(xw, "network_type")
@@ -92,6 +97,4 @@ def wide_school_network_assoc(wh) -> DataFrame:
 def dim_esc(wh) -> DataFrame:
     """Service centers with their chosen address: Physical if present, else first alphabetically."""
     e = wh("stg_ef3__education_service_centers")
-    a = row_pluck(wh("stg_ef3__education_service_centers__addresses"), "k_esc", "address_type", "Physical").select(
-        "k_esc", "address_type", "street_address")
-    return e.join(a, "k_esc", "left")
+    return e.join(current_address(wh, "stg_ef3__education_service_centers__addresses", "k_esc"), "k_esc", "left")

@@ -10,6 +10,7 @@ from ..functions.columns import not_in
 from ..operators.joins import seed
 from ..operators.sets import sorted_array, union_all
 from ..sources.program_stages import GENERIC, PROGRAM_STAGES
+from .custom import add_extensions, extension_names
 from .registry import dataset
 
 
@@ -143,11 +144,10 @@ _ENROLLMENT = ("k_student_program", "k_student", "k_student_xyear", "k_program",
 def program_association(wh, stage: str) -> DataFrame:
     """A program's own stage joined to known students and programs."""
     spec = PROGRAM_STAGES[stage]
-    st = wh(spec.associations)
+    st = add_extensions(wh, spec.associations, wh(spec.associations))
     j = (st.drop("k_student_xyear").join(wh("dim_student").select("k_student", "k_student_xyear"), "k_student")
          .join(wh("dim_program").select("k_program"), "k_program"))
-    more = [c for c in wh.config.extensions.get(spec.associations, ()) if c in st.columns]
-    return j.select(*_ENROLLMENT, *[name for name, _ in spec.attributes], *more)
+    return j.select(*_ENROLLMENT, *[name for name, _ in spec.attributes], *extension_names(wh, spec.associations))
 
 
 @dataset("fct_student_special_education_program_association", grain=("k_student_program",))

@@ -33,7 +33,7 @@ DATASETS: dict[str, Dataset] = {}
 def dataset(name: str, grain: tuple[str, ...] = (), domain: str = "core", materialized: str | None = None):
     """Register a dataset.  Builds (``bld_*``) are ephemeral unless told
     otherwise: inlined into the one dataset that reads them."""
-    kind = name.split("_", 1)[0] if name.split("_", 1)[0] in ("dim", "fct", "brg", "msr") else "build"
+    kind = name.split("_", 1)[0] if name.split("_", 1)[0] in ("dim", "fct", "brg", "msr", "qc") else "build"
     materialized = materialized or ("ephemeral" if kind == "build" else "table")
 
     def deco(fn):
@@ -54,7 +54,7 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, sources: Callable[[str], DataFrame], config: Config,
-                 materialize: bool = True, table_root: str | None = None):
+                 materialize: bool = True, table_root: str | None = None, lay_out: bool = False):
         self.spark = spark
         self.sources = sources
         self.config = config
@@ -64,6 +64,9 @@ class Warehouse:
         self._tables: dict[str, DataFrame] = {}
         self._depth = 0
         self._force_name = None
+        self._lay_out = lay_out
+        #: dataset -> rows and NULLs of its grain, counted while its table was written
+        self.observed: dict[str, dict] = {}
 
     @property
     def root(self) -> str:
@@ -87,22 +90,36 @@ class Warehouse:
         df = self._memo[name]
         if (self.materialize and self._depth > 0 and name in DATASETS
                 and (DATASETS[name].materialized == "table" or name == self._force_name)):
-            from ..sources.sinks import materialize
-            df = materialize(df, f"{self.root}/{name}")
+            df = self._write(name, df)
             self._tables[name] = df
         return df
 
+    def _write(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a dataset as a table; with ``lay_out`` the way it is kept:
+        facts and measures partitioned by school year, all clustered."""
+        from ..sources.sinks import materialize, observed
+        from ..sources.store import layout
+        d = DATASETS[name]
+        df, seen = observed(df, [g for g in d.grain if g in df.columns])
+        partition, cluster = (), ()
+        if self._lay_out:
+            partition = ("school_year",) if d.kind in ("fct", "msr") and "school_year" in df.columns else ()
+            cluster = tuple(c for c in layout(df.columns, d.grain) if c not in partition)
+        out = materialize(df, f"{self.root}/{name}", partition, cluster)
+        self.observed[name] = seen.get
+        return out
+
     def table(self, name: str) -> DataFrame:
         """Full-refresh one dataset: write it (and any missing dependency) as a table."""
         if name in self._tables:
             return self._tables[name]
+        forced, self._force_name = self._force_name, name
         self._depth += 1
-        self._force_name = name
         try:
             return self(name)
         finally:
             self._depth -= 1
-            self._force_name = None
+            self._force_name = forced
 
     def bucketed(self, names, key: str) -> None:
         """Write the datasets that aren't tables yet as tables bucketed and sorted

@@ -5,23 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import display_name, iff
+from ..functions.columns import iff
 from ..functions.dates import within_end_date
-from ..operators.dedupe import deduplicate, row_pluck
+from ..operators.dedupe import first_by, row_pluck
 from ..operators.windows import flag_partition_max
 from .checks import check
 from .registry import dataset
 
 # fixed value: e-mail shape, anchored at the start only
-EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]+"
+EMAIL_PATTERN = r"^[a-zA-Z0-9_.'\-]+[+]?[a-zA-Z0-9.-]*@[a-zA-Z0-9.\-]+[.][a-zA-Z0-9]{2,9}"
 
 
-def _active(df: DataFrame, today) -> DataFrame:
+def _active(df: DataFrame, today, name: str = "is_active_enrollment") -> DataFrame:
     """W7 + P18: latest school year of the tenant (aggregate + broadcast), begun, not ended."""
     df = flag_partition_max(df, ["tenant_code"], "school_year", "__latest_year", few_partitions=True)
     cond = F.col("__latest_year") & (F.col("end_date").isNull() | (F.col("end_date") >= today)) \
         & (F.col("begin_date") <= today)
-    return df.withColumn("is_active_enrollment", iff(cond, True, False)).drop("__latest_year")
+    return df.withColumn(name, iff(cond, True, False)).drop("__latest_year")
 
 
 @dataset("fct_student_section_association", grain=("k_student", "k_course_section", "begin_date"))
@@ -58,23 +58,27 @@ def staff_official_emails(wh) -> DataFrame:
     e = wh("bld_staff_emails")
     domain = F.split_part(F.col("email_address"), F.lit("@"), F.lit(2))
     e = e.filter(F.col("is_valid_email") & F.col("email_type").isin(list(cfg.official_email_types))
-                 & (~F.lower(domain).isin(list(cfg.banned_email_domains)) | domain.isNull()))
-    return deduplicate(e, ["k_staff", "email_address"], [F.col("email_type").asc_nulls_last()]).select(
+                 & ~domain.isin(list(cfg.banned_email_domains)))
+    return first_by(e, ["k_staff", "email_address"], [("email_type", "asc nulls last"), ("k_school", "asc nulls last")]).select(
         "tenant_code", "k_staff", "email_type", "email_address")
 
 
 @dataset("dim_staff", grain=("k_staff",))
 def dim_staff(wh) -> DataFrame:
-    """Staff with their preferred e-mail (R2 on type, valid addresses only) and display name."""
-    cfg = wh.config
+    """Staff with ids, preferred e-mail (R2 on its type, valid or not), race and
+    display names (J2)."""
+    from .custom import add_custom_columns
     st = wh("stg_ef3__staffs")
-    em = row_pluck(wh("bld_staff_emails"), "k_staff", "email_type", cfg.preferred_staff_email,
-                   where=F.col("is_valid_email"), tie_break=[F.col("email_address").asc_nulls_last()]).select("k_staff", F.col("email_address").alias("email_address"),
-                                                         F.col("email_type").alias("email_type"))
-    return st.join(em, "k_staff", "left").select(
-        "k_staff", "tenant_code", "staff_unique_id", "first_name", "middle_name", "last_name",
-        display_name("last_name", "first_name", "middle_name").alias("display_name"), "email_address", "email_type",
-        "school_id")
+    em = row_pluck(wh("bld_staff_emails"), "k_staff", "email_type", wh.config.preferred_staff_email,
+                   tie_break=[F.col("email_address").asc_nulls_last()]).select("k_staff", "email_address", "email_type")
+    ids = wh("bld_wide_ids_staff").drop("tenant_code", "api_year")
+    race = wh("bld_staff_race_ethnicity").select("k_staff", "race_ethnicity")
+    name = F.concat("last_name", F.lit(", "), "first_name")
+    out = (st.join(ids, "k_staff", "left").join(em, "k_staff", "left").join(race, "k_staff", "left").select(
+        "k_staff", "tenant_code", "staff_unique_id", *[c for c in ids.columns if c != "k_staff"], "email_address", "email_type",
+        name.alias("display_name"), F.concat(name, F.lit(" ("), "staff_unique_id", F.lit(")")).alias("safe_display_name"),
+        "first_name", "last_name", "middle_name", "race_ethnicity"))
+    return add_custom_columns(wh, "dim_staff", out, ["k_staff"])
 
 
 @dataset("fct_staff_section_association", grain=("k_staff", "k_course_section", "begin_date"))
@@ -83,9 +87,9 @@ def fct_staff_section_association(wh) -> DataFrame:
     s = wh("stg_ef3__staff_section_associations")
     j = s.join(wh("dim_staff").select("k_staff"), "k_staff").join(
         wh("dim_course_section").select("k_course_section", "k_school"), "k_course_section")
-    j = _active(j, wh.config.today())
+    j = _active(j, wh.config.today(), "is_active_assignment")
     return j.select("k_staff", "k_course_section", "k_school", "tenant_code", "school_year", "begin_date", "end_date",
-                    "classroom_position", "is_active_enrollment")
+                    "classroom_position", "is_active_assignment")
 
 
 @dataset("qc_sections_per_enrollment", grain=("tenant_code", "k_school", "k_student", "school_year", "entry_date"),

@@ -38,7 +38,7 @@ def build_session(master: str | None = None, app: str = "rollcall",
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    b = b.config("spark.driver.memory", os.environ.get("ROLLCALL_DRIVER_MEMORY", "16g"))
+    b = b.config("spark.driver.memory", os.environ.get("ROLLCALL_DRIVER_MEMORY", "8g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -51,12 +51,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment (a shared filesystem path) and
-    is only read here.  Only when it is unset (local tests) do we pick a
-    scratch folder of our own.
+    is only read here; there it is an error if it is unset, as executors don't
+    share a folder of the driver's.  In local mode a scratch folder is made.
     """
     conf = spark.sparkContext.getConf()
     d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="rollcall-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

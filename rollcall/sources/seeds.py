@@ -81,11 +81,11 @@ STUDENT_PROGRAMS = [
     ("3-MEDIUM", "medium_support", False, True, True),
 ]
 
-# fixed values: discipline behaviors -> severity order (the highest is most severe)
+# fixed values: discipline behaviors -> severity order (the highest is most severe), and a column of the district's own
 DISCIPLINE_BEHAVIORS = [
-    ("Major", 3),
-    ("Moderate", 2),
-    ("Minor", 1),
+    ("Major", 3, "Safety"),
+    ("Moderate", 2, "Conduct"),
+    ("Minor", 1, "Conduct"),
 ]
 
 # fixed values: discipline actions -> severity and suspension/expulsion flags
@@ -161,7 +161,7 @@ _SCHEMAS = {
     "xwalk_subgroup_category_display_names": "subgroup_category string, subgroup_category_display_name string",
     "xwalk_subgroup_value_display_names": "subgroup_category string, subgroup_value string, subgroup_value_display_name string",
     "xwalk_student_programs": "program_name string, indicator_name string, is_active boolean, is_annual boolean, is_ever boolean",
-    "xwalk_discipline_behaviors": "behavior_type string, severity_order int",
+    "xwalk_discipline_behaviors": "behavior_type string, severity_order int, behavior_group string",
     "xwalk_assessment_school_year_dates": "assessment_identifier string, namespace string, school_year int, start_date date, end_date date",
     "xwalk_id_types_student": "id_system string, id_name string",
     "xwalk_id_types_staff": "id_system string, id_name string",

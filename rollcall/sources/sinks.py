@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -24,19 +25,29 @@ def table_root(spark: SparkSession, base: str | None = None) -> str:
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
                 cluster_by: tuple[str, ...] = ()) -> None:
-    """S5 full refresh; S8 clustered layout (range partition + in-partition sort)."""
+    """S5 full refresh; S8 clustered layout: rows are dealt by ranges of the
+    columns and sorted in their files, so that the row groups of a Parquet file
+    hold narrow ranges and a reader skips those its filters rule out."""
     if cluster_by:
-        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*partition_by, *cluster_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write and read back: cuts lineage at a table boundary."""
-    write_table(df, path)
-    return df.sparkSession.read.parquet(path)
+def materialize(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), cluster_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write and read back: cuts lineage at a table boundary.  The schema read
+    back is the one written, whatever is guessed from folder names."""
+    write_table(df, path, partition_by, cluster_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def observed(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """Rows counted on their way to a table, and the NULLs of the columns."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"),
+                      *[F.count_if(F.col(c).isNull()).alias(f"null:{c}") for c in columns]), seen
 
 
 def materialize_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
@@ -49,8 +60,18 @@ def materialize_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> Da
     return df.sparkSession.table(name)
 
 
-def audit(violations: DataFrame, check: str, severity: str, run_date: dt.date | None = None) -> DataFrame:
-    """Violating rows tagged with the check name, severity and run date."""
+def audit(violations: DataFrame, check: str, severity: str, run_date: dt.date | None = None,
+          run_id: str | None = None) -> DataFrame:
+    """Violating rows tagged with the run, the check, its severity and the run date."""
     rd = F.lit(run_date) if run_date else F.current_date()
-    return violations.select(F.lit(check).alias("check_name"), F.lit(severity).alias("severity"),
-                             rd.alias("run_date"), F.to_json(F.struct(*violations.columns)).alias("row_json"))
+    return violations.select(F.lit(run_id).cast("string").alias("run_id"), F.lit(check).alias("check_name"),
+                             F.lit(severity).alias("severity"), rd.alias("run_date"),
+                             F.to_json(F.struct(*violations.columns)).alias("row_json"))
+
+
+def append_audit(rows: DataFrame, path: str) -> int:
+    """Append audit rows and return how many: counted in the job that writes
+    them, so earlier runs in the folder are neither read nor counted."""
+    rows, seen = observed(rows, [])
+    rows.write.mode("append").parquet(path)
+    return seen.get["rows"]

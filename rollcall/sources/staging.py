@@ -157,6 +157,7 @@ class Staging(ProgramStaging):
             F.col("n_nationkey").cast("string").alias("lea_id"),
             F.col("n_name").alias("lea_name"),
             F.lit("Independent").alias("lea_category"),
+            key("tenant_code", F.lit("esc")).alias("k_esc"),
         )
 
     def _stg_ef3__schools(self) -> DataFrame:
@@ -503,7 +504,21 @@ class Staging(ProgramStaging):
                         F.concat(F.col("address_type"), F.lit(" Rd "), F.col("school_id").cast("string"))
                         .alias("street_address"),
                         F.concat(F.lit("City "), _mod("school_id", 50).cast("string")).alias("city"),
-                        F.lpad(_mod("school_id", 100000).cast("string"), 5, "0").alias("postal_code"))
+                        F.lpad(_mod("school_id", 100000).cast("string"), 5, "0").alias("postal_code"),
+                        F.when((F.col("address_type") == "Physical") & (_mod("school_id", 4) == 1), F.lit(dt.date(2023, 6, 30)))
+                        .alias("address_end_date"))
+
+    def _stg_ef3__local_education_agencies__addresses(self) -> DataFrame:
+        n = self("nation_tenant")
+        types = F.when(_mod("n_nationkey", 2) == 0, F.array(F.lit("Physical"), F.lit("Mailing"))).otherwise(
+            F.array(F.lit("Mailing"), F.lit("Billing")))
+        a = n.select("*", F.explode(types).alias("address_type"))
+        return a.select("tenant_code", key("tenant_code", "n_nationkey").alias("k_lea"), "address_type",
+                        F.concat(F.col("address_type"), F.lit(" Ave "), F.col("n_nationkey").cast("string")).alias("street_address"),
+                        F.initcap("n_name").alias("city"),
+                        F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("postal_code"),
+                        F.when((F.col("address_type") != "Mailing") & (_mod("n_nationkey", 3) == 0), F.lit(dt.date(2023, 6, 30)))
+                        .alias("address_end_date"))
 
     def _stg_ef3__schools__identification_codes(self) -> DataFrame:
         sch = self("stg_ef3__schools").select("tenant_code", "k_school", "school_id")
@@ -555,8 +570,11 @@ class Staging(ProgramStaging):
         g = self._at_school(li.join(o, "l_orderkey"), "o_custkey", school="stu_school")
         g = self._at_school(g, "l_partkey", school="part_school", tenant="part_tenant")
         period = F.when(_mod("l_linenumber", 2) == 0, F.lit(GRADING_PERIODS[0][0])).otherwise(F.lit(GRADING_PERIODS[1][0]))
+        ext = F.concat(F.lit('{"grading": {"scale": "'), F.when(_mod("l_linenumber", 2) == 0, "A-F").otherwise("1-4"),
+                       F.lit('"}, "attempts": ['), F.col("l_linenumber").cast("string"), F.lit("]}"))
         return g.select(
-            "tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+            "tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"), F.lit(SCHOOL_YEAR).alias("api_year"),
+            F.when(_mod("l_linenumber", 7) != 0, ext).alias("v_ext"),
             key("tenant_code", "o_custkey", F.lit(SCHOOL_YEAR)).alias("k_student"),
             key("tenant_code", "stu_school").alias("k_school"),
             key("part_tenant", "l_partkey", F.lit("S1")).alias("k_course_section"),
@@ -582,28 +600,48 @@ class Staging(ProgramStaging):
                         F.col("event_id").cast("string").alias("incident_id"),
                         F.col("home_school_id").cast("string").alias("school_id"),
                         "incident_date", F.col("value").alias("incident_cost"),
-                        (_mod("event_id", 4) == 0).alias("was_reported_to_law_enforcement"))
+                        (_mod("event_id", 4) == 0).alias("was_reported_to_law_enforcement"),
+                        F.to_json(F.transform(self._behaviors(), lambda b: F.struct(b.alias("behaviorDescriptor")))).alias("v_behaviors"))
+
+    @staticmethod
+    def _behaviors() -> Column:
+        """Behaviors of an incident; one in 21 has the same behavior twice."""
+        return F.when(_mod("event_id", 21) == 0, F.array("behavior_type", "behavior_type")).when(
+            _mod("event_id", 7) == 0, F.array("behavior_type", F.lit("Unlisted"))).otherwise(F.array("behavior_type"))
+
+    @staticmethod
+    def _behavior_description() -> Column:
+        return F.when(_mod("event_id", 3) == 0, F.concat(F.lit("Seen by staff: "), F.col("behavior_type"))).alias(
+            "behavior_detailed_description")
 
     def _stg_ef3__discipline_incidents__behaviors(self) -> DataFrame:
         e = self("error_events")
-        types = F.when(_mod("event_id", 7) == 0, F.array("behavior_type", F.lit("Unlisted"))).otherwise(
-            F.array("behavior_type"))
-        return e.select(key("tenant_code", "home_school_id", "event_id").alias("k_discipline_incident"),
-                        F.explode(types).alias("behavior_type"))
+        x = e.select("tenant_code", "home_school_id", "event_id", F.explode(self._behaviors()).alias("behavior_type"))
+        return x.select(key("tenant_code", "home_school_id", "event_id").alias("k_discipline_incident"), "behavior_type",
+                        self._behavior_description())
 
     def _stg_ef3__student_discipline_incident_behavior_associations(self) -> DataFrame:
-        b = self("stg_ef3__discipline_incidents__behaviors")
+        b = self("stg_ef3__discipline_incidents__behaviors").distinct()
         e = self("error_events").select("tenant_code", "home_school_id", "event_id", "user_id",
                                         key("tenant_code", "home_school_id", "event_id").alias("k_discipline_incident"))
         j = b.join(e, "k_discipline_incident")
         return j.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
                         key("tenant_code", "user_id", F.lit(SCHOOL_YEAR)).alias("k_student"),
                         key("tenant_code", "user_id").alias("k_student_xyear"),
-                        "k_discipline_incident", "behavior_type",
+                        "k_discipline_incident", "behavior_type", "behavior_detailed_description",
                         F.col("event_id").cast("string").alias("incident_id"),
                         F.col("home_school_id").cast("string").alias("school_id"),
                         key("tenant_code", "home_school_id").alias("k_school"))
 
+    def _stg_ef3__student_discipline_incident_behavior_associations__participation_codes(self) -> DataFrame:
+        e = self("error_events")
+        codes = F.when(_mod("event_id", 2) == 0, F.array(F.lit("Perpetrator"), F.lit("Accomplice"), F.lit("Perpetrator"))).when(
+            _mod("event_id", 5) != 0, F.array(F.lit("Perpetrator"))).otherwise(F.array().cast("array<string>"))
+        return e.select("tenant_code", key("tenant_code", "user_id", F.lit(SCHOOL_YEAR)).alias("k_student"),
+                        key("tenant_code", "user_id").alias("k_student_xyear"),
+                        key("tenant_code", "home_school_id", "event_id").alias("k_discipline_incident"),
+                        F.explode(codes).alias("participation_code"))
+
     def _stg_ef3__discipline_actions(self) -> DataFrame:
         e = self("error_events")
         school = key("tenant_code", "home_school_id")
@@ -1127,7 +1165,7 @@ class Staging(ProgramStaging):
               .withColumn("section_index", _mod("event_id", self.n_sections)).join(self("part_index"), "section_index"))
         j = self._at_school(ev, "user_id", school="u_school")
         j = self._at_school(j, "p_partkey", school="p_school", tenant="p_tenant")
-        return j.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+        return j.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"), F.lit(SCHOOL_YEAR).alias("api_year"),
                         key("tenant_code", "user_id", F.lit(SCHOOL_YEAR)).alias("k_student"),
                         key("p_tenant", "p_partkey", F.lit("S1")).alias("k_course_section"),
                         F.to_date("ts").alias("attendance_event_date"),
@@ -1197,7 +1235,10 @@ class Staging(ProgramStaging):
         x = r.select("*", F.explode(types).alias("address_type"))
         return x.select(key("tenant_code", F.lit("esc")).alias("k_esc"), "address_type",
                         F.concat(F.col("address_type"), F.lit(" Way "), F.col("r_regionkey").cast("string"))
-                        .alias("street_address"))
+                        .alias("street_address"), F.initcap("tenant_code").alias("city"),
+                        F.lpad(F.col("r_regionkey").cast("string"), 5, "0").alias("postal_code"),
+                        F.when((F.col("address_type") == "Physical") & (F.col("r_regionkey") == 2), F.lit(dt.date(2023, 6, 30)))
+                        .alias("address_end_date"))
 
     def _stg_ef3__fund_dimensions(self) -> DataFrame:
         return self._account_dimension("fund")
