@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -33,7 +34,23 @@ def written(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def removed(*tables: DataFrame) -> None:
+    """Remove tables made by ``written`` that nothing lazy reads any more, and let
+    Spark's cleaner remove the shuffle files of the finished jobs before them: it
+    does so for plans that are garbage on both sides, which neither side collects
+    by itself while its heap has room."""
+    spark = tables[0].sparkSession
+    for t in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    del tables
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def ascii_lower(c: Column) -> Column:

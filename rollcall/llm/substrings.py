@@ -36,6 +36,8 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -44,7 +46,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, text_bytes, written
+from .common import arrow_rows, removed, text_bytes, written
 
 MIN_WORDS, K = 35, 8
 MARGIN = MIN_WORDS - K
@@ -195,23 +197,33 @@ def _state(size: int, **given) -> dict:
             if c in given else [None] * size for c in names}
 
 
-def _repeats(classes: DataFrame, contexts: DataFrame) -> DataFrame:
-    """``key, around, mask`` of all classes with repeated windows."""
-    found = classes.where("n > 1").select("key", "around", F.lit(ALL).alias("mask"))
+def _merged(marks: DataFrame) -> DataFrame:
+    return marks.groupBy("key", "around").agg(F.bit_or("mask").alias("mask"))
+
+
+def _repeats(contexts: DataFrame) -> list[DataFrame]:
+    """Tables ``key, around, mask`` of the windows that several classes share;
+    ``contexts`` and all other tables of the rounds are removed."""
+    found = []
     state = written(contexts.select(
         F.col("key").alias("g"), F.greatest(F.lit(0), MARGIN - F.col("nr")).alias("lo"), F.col("nl").alias("hi"), "*",
         F.lit(None).cast("int").alias("mask")).where("lo <= hi"), "substring-round")
+    removed(contexts)
     while True:
         rows = state.where("g is not null").drop("mask")
         groups = written(rows.groupBy("g").agg(F.min("around").alias("around"), F.count("*").alias("k"), F.min("n").alias("least"))
                          .where("k > 1 and least = 1").select("g", "around"), "substring-groups")
         if groups.isEmpty():
-            return found.groupBy("key", "around").agg(F.bit_or("mask").alias("mask"))
+            removed(groups, state)
+            return found
         heads = written(rows.join(groups, ["g", "around"]).select("g", *(F.col(c).alias(f"head_{c}") for c in (
             "around", "nl", "nr", "left", "right"))), "substring-heads")
         pairs = rows.join(heads, "g").where("around != head_around")
-        state = written(arrow_rows(pairs, _STATE, _extend), "substring-round")
-        found = found.unionByName(state.where("mask is not null").select("key", "around", "mask"))
+        after = written(arrow_rows(pairs, _STATE, _extend), "substring-round")
+        found.append(written(_merged(after.where("mask is not null")), "substring-marks"))
+        del rows, pairs
+        removed(groups, heads, state)
+        state = after
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -221,14 +233,22 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     src = docs.select("doc_id", "text").withColumns(_row_hashes())
     places = written(arrow_rows(src, "rid bigint, rid2 bigint, pos int, key bigint, around bigint", _seeds), "substring-places")
     classes = written(places.groupBy("key", "around").agg(F.count("*").alias("n"), F.min("rid").alias("rid")), "substring-classes")
+    copies = written(classes.where("n > 1").select("key", "around", F.lit(ALL).alias("mask")), "substring-marks")
     # anchors with several classes, one of which has a single place
     open_keys = classes.groupBy("key").agg(F.count("*").alias("k"), F.min("n").alias("least")).where("k > 1 and least = 1").select("key")
-    wanted = (classes.join(open_keys, "key").groupBy("rid")
-              .agg(F.collect_list(F.struct("key", "around", "n")).alias("wanted")))
-    contexts = arrow_rows(src.select("rid", "text").join(wanted, "rid").select("text", "wanted"),
-                          "key bigint, around bigint, n bigint, nl int, nr int, left binary, right binary", _contexts)
-    marks = _repeats(classes, written(contexts, "substring-contexts").dropDuplicates(["key", "around"]))
-    by_row = (places.join(written(marks, "substring-marks"), ["key", "around"]).groupBy(F.col("rid").alias("r"), F.col("rid2").alias("r2"))
+    wanted = written(classes.join(open_keys, "key").groupBy("rid")
+                     .agg(F.collect_list(F.struct("key", "around", "n")).alias("wanted")), "substring-wanted")
+    del open_keys
+    removed(classes)
+    contexts = written(arrow_rows(src.select("rid", "text").join(wanted, "rid").select("text", "wanted"),
+                                  "key bigint, around bigint, n bigint, nl int, nr int, left binary, right binary", _contexts)
+                       .dropDuplicates(["key", "around"]), "substring-contexts")
+    removed(wanted)
+    parts = [copies, *_repeats(contexts)]
+    del contexts
+    marks = written(_merged(reduce(DataFrame.unionByName, parts)), "substring-marks")
+    removed(*parts)
+    by_row = (places.join(marks, ["key", "around"]).groupBy(F.col("rid").alias("r"), F.col("rid2").alias("r2"))
               .agg(F.collect_set(F.struct("pos", "mask")).alias("at")))
     joined = src.join(by_row, (F.col("rid") == F.col("r")) & (F.col("rid2") == F.col("r2")), "left").select("doc_id", "text", "at")
 
