@@ -34,9 +34,9 @@ TABLES = {
         "k_student": "dim_student", "k_program": "dim_program", "k_lea": "dim_lea", "k_school": "dim_school"}),
     "fct_student_special_education_program_association": ("o_fct_special_education_program", "k_student_program", {
         "k_student": "dim_student", "k_program": "dim_program", "k_lea": "dim_lea", "k_school": "dim_school"}),
-    "dim_course": ("o_dim_course", "k_course", {"k_school": "dim_school"}),
+    "dim_course": ("o_dim_course", "k_course", {"k_lea": "dim_lea", "k_school": "dim_school"}),
     "dim_course_section": ("o_dim_course_section", "k_course_section", {
-        "k_course": "dim_course", "k_school": "dim_school", "k_session": "dim_session"}),
+        "k_course": "dim_course", "k_school": "dim_school", "k_session": "dim_session", "k_classroom": "dim_classroom"}),
     "dim_grading_period": ("o_dim_grading_period", "k_grading_period", {"k_school": "dim_school"}),
     "fct_student_grades": ("o_fct_grades", "k_student,k_course_section,k_grading_period,grade_type", {
         "k_student": "dim_student", "k_course_section": "dim_course_section", "k_school": "dim_school",

@@ -105,17 +105,16 @@ JOIN o_cal_events_summary s ON d.k_calendar_date = s.k_calendar_date""",
     "stg_calendar_dates", "o_dim_school_calendar", "o_cal_events_summary")
 
 cte("o_dim_calendar_date", """
-SELECT a.k_calendar_date, a.k_school_calendar, a.k_school, a.tenant_code, a.calendar_code, a.school_year,
-       a.calendar_date, a.calendar_event, a.calendar_events_array, a.is_school_day,
-       CASE WHEN a.is_school_day THEN a.day_of_school_year END AS day_of_school_year,
-       a.week_day, a.week_of_calendar_year,
-       CASE WHEN NOT a.is_school_day THEN NULL
-            WHEN a.week_of_calendar_year >= o.start_week_offset THEN a.week_of_calendar_year - o.start_week_offset
-            ELSE a.week_of_calendar_year + 52 - o.start_week_offset END AS week_of_school_year
-FROM o_cal_aug a
-JOIN (SELECT k_school_calendar, week_of_calendar_year - 1 AS start_week_offset
-      FROM o_cal_aug WHERE day_of_school_year = 1 AND is_school_day) o
-  ON a.k_school_calendar = o.k_school_calendar""", "o_cal_aug")
+SELECT k_calendar_date, k_school_calendar, k_school, tenant_code, calendar_code, school_year, calendar_date, calendar_event,
+       calendar_events_array, is_school_day, CASE WHEN is_school_day THEN day_of_school_year END AS day_of_school_year,
+       week_day, week_of_calendar_year,
+       CASE WHEN NOT is_school_day THEN NULL
+            WHEN week_of_calendar_year >= start_week_offset THEN week_of_calendar_year - start_week_offset
+            ELSE week_of_calendar_year + 52 - start_week_offset END AS week_of_school_year
+FROM (SELECT *, min(CASE WHEN is_school_day AND day_of_school_year = 1 THEN week_of_calendar_year - 1 END)
+                  OVER (PARTITION BY k_school_calendar) AS start_week_offset
+      FROM o_cal_aug)
+WHERE start_week_offset IS NOT NULL""", "o_cal_aug")
 
 cte("o_school_calendar_windows", """
 SELECT tenant_code, k_school, school_year, k_school_calendar,

@@ -150,25 +150,31 @@ SELECT l AS letter_grade, CAST(p AS DECIMAL(3,2)) AS unweighted_gpa_points, x AS
 FROM (VALUES ('a', 4.00, false, false, 1), ('n', 1.00, false, true, 2)) t(l, p, x, d, i)""")
 
 cte("part_home", """
-SELECT p.p_partkey, p.p_name, p.p_brand, p.p_type, p.p_size, h.home_school_id, h.tenant_code
+SELECT p.p_partkey, p.p_name, p.p_brand, p.p_type, p.p_size, h.home_school_id, h.home_nationkey, h.tenant_code
 FROM part p JOIN home_school h ON p.p_partkey % (SELECT count(*) FROM supplier) = h.school_index""", "home_school")
 
 cte("o_dim_course", f"""
-SELECT {K('p.tenant_code', 'p.p_partkey')} AS k_course, {K('p.tenant_code', 'p.home_school_id')} AS k_school,
-       p.tenant_code, 2024 AS school_year, CAST(p.p_partkey AS VARCHAR) AS course_code, p.p_name AS course_title,
-       upper(left(p.p_type, 1)) || lower(substr(p.p_type, 2)) AS academic_subject
-FROM part_home p
-WHERE {K('p.tenant_code', 'p.home_school_id')} IN (SELECT k_school FROM o_dim_school)""", "part_home", "o_dim_school")
+SELECT {K('p.tenant_code', 'p.p_partkey')} AS k_course, p.tenant_code, 2024 AS school_year, CAST(p.p_partkey AS VARCHAR) AS course_code,
+       p.p_name AS course_title, p.p_name AS lea_course_code, 'S' || CAST(p.p_partkey % 100 AS VARCHAR) AS sced_course_code,
+       {K('p.tenant_code', 'p.home_nationkey')} AS k_lea, {K('p.tenant_code', 'p.home_school_id')} AS k_school,
+       CAST(p.home_school_id AS VARCHAR) AS ed_org_id, 'School' AS ed_org_type, s.academic_subject, s.subject_array
+FROM part_home p LEFT JOIN o_course_subject s ON {K('p.tenant_code', 'p.p_partkey')} = s.k_course""", "part_home", "o_course_subject")
 
 cte("o_dim_course_section", f"""
 SELECT {K('p.tenant_code', 'p.p_partkey', "'S1'")} AS k_course_section, c.k_course, c.k_school,
-       {K('p.tenant_code', 'p.home_school_id', '2024', "'Year Round'")} AS k_session, p.tenant_code,
-       2024 AS school_year, CAST(p.p_partkey AS VARCHAR) || '-S1' AS section_id, p.p_brand AS section_name,
-       p.p_size AS available_credits, c.course_code, c.course_title, c.academic_subject, ds.session_name
+       {K('p.tenant_code', 'p.home_school_id', '2024', "'Year Round'")} AS k_session,
+       CASE WHEN p.p_partkey % 3 <> 0 THEN {K('p.tenant_code', 'p.home_school_id', "'R101'")} END AS k_classroom, p.tenant_code,
+       CAST(p.p_partkey AS VARCHAR) || '-S1' AS section_id, p.p_brand AS section_name,
+       'L' || CAST(p.p_partkey AS VARCHAR) AS local_course_code, p.p_name || ' (local)' AS local_course_title,
+       c.course_code, c.course_title, 2024 AS school_year, 'Year Round' AS session_name, c.academic_subject,
+       p.p_size * 10 AS instructional_time_planned, p.p_partkey % 8 = 0 AS is_official_attendance_period,
+       p.p_partkey % 2 + 1 AS sequence_of_course, coalesce(w.is_ap, false) AS is_ap,
+       coalesce(w.is_dual_credit, false) AS is_dual_credit, coalesce(w.is_honors, false) AS is_honors,
+       w.course_level_characteristics_array, 'Classroom' AS educational_environment_type, p.p_size AS available_credits
 FROM part_home p
 JOIN o_dim_course c ON {K('p.tenant_code', 'p.p_partkey')} = c.k_course
-LEFT JOIN o_dim_session ds ON {K('p.tenant_code', 'p.home_school_id', '2024', "'Year Round'")} = ds.k_session""",
-    "part_home", "o_dim_course", "o_dim_session")
+LEFT JOIN o_course_char_wide w ON {K('p.tenant_code', 'p.p_partkey', "'S1'")} = w.k_course_section""",
+    "part_home", "o_dim_course", "o_course_char_wide")
 
 cte("o_dim_grading_period", f"""
 SELECT {K('s.tenant_code', 's.school_id', '2024', 'g.n')} AS k_grading_period, s.k_school, s.tenant_code,
@@ -873,25 +879,29 @@ JOIN o_dim_school d ON a.k_school = d.k_school""", "o_fct_staff_school", "o_dim_
 
 # ---------------------------------------------------------------- course extras
 cte("o_course_char_long", f"""
-SELECT DISTINCT tenant_code, k_course_section, ch AS course_level_characteristic FROM (
+SELECT DISTINCT tenant_code, 2024 AS api_year, k_course_section, ch AS course_level_characteristic FROM (
   SELECT tenant_code, {K('tenant_code', 'p_partkey', "'S1'")} AS k_course_section,
          CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 9 = 0 THEN 'Dual Credit'
               WHEN p_partkey % 4 = 0 THEN 'Honors' END AS ch
   FROM part_home
   UNION ALL
   SELECT tenant_code, {K('tenant_code', 'p_partkey', "'S1'")}, CASE WHEN p_size > 40 THEN 'Honors' END
+  FROM part_home
+  UNION ALL
+  SELECT tenant_code, {K('tenant_code', 'p_partkey', "'S1'")},
+         CASE WHEN p_partkey % 10 = 0 THEN 'AP' WHEN p_partkey % 6 = 0 THEN 'Honors' END
   FROM part_home) t
 WHERE ch IS NOT NULL""", "part_home")
 
 cte("o_course_char_wide", """
-SELECT k_course_section, list_sort(list(course_level_characteristic)) AS course_level_characteristics,
+SELECT tenant_code, api_year, k_course_section, list_sort(list(course_level_characteristic)) AS course_level_characteristics_array,
        bool_or(coalesce(course_level_characteristic = 'AP', false)) AS is_ap,
        bool_or(coalesce(course_level_characteristic = 'Dual Credit', false)) AS is_dual_credit,
        bool_or(coalesce(course_level_characteristic = 'Honors', false)) AS is_honors
-FROM o_course_char_long GROUP BY 1""", "o_course_char_long")
+FROM o_course_char_long GROUP BY 1, 2, 3""", "o_course_char_long")
 
 cte("o_course_subject", f"""
-SELECT {K('p.tenant_code', 'p.p_partkey')} AS k_course, s.subjects AS academic_subjects,
+SELECT p.tenant_code, 2024 AS api_year, {K('p.tenant_code', 'p.p_partkey')} AS k_course, s.subjects AS subject_array,
        coalesce(CASE WHEN len(s.subjects) = 1 THEN s.subjects[1] WHEN len(s.subjects) > 1 THEN 'Multiple' END,
                 upper(left(p.p_type, 1)) || lower(substr(p.p_type, 2))) AS academic_subject
 FROM part_home p
@@ -1576,3 +1586,17 @@ LEFT JOIN xwalk_letter_grades x ON lower(g.letter_grade_earned) = x.letter_grade
 
 cte("o_fct_homeless_program_custom", """
 SELECT *, '1-URGENT' AS program_name FROM o_fct_homeless_program""", "o_fct_homeless_program")
+
+_BY_TERM = """PARTITION BY k_student, k_student_xyear, school_year, k_lea, k_school, diploma_type, diploma_award_date
+                  ORDER BY CASE academic_term WHEN 'Spring' THEN 1 WHEN 'Fall' THEN 2 END ASC NULLS LAST, k_student_academic_record"""
+cte("o_fct_diploma_custom", f"""
+SELECT * EXCLUDE (academic_term) FROM o_diplomas QUALIFY row_number() OVER ({_BY_TERM}) = 1""", "o_diplomas")
+cte("o_dq_d27_custom", f"""
+SELECT *, count(*) OVER (PARTITION BY k_student, k_student_xyear, school_year, k_lea, k_school, diploma_type, diploma_award_date)
+            AS n_duplicates,
+       row_number() OVER ({_BY_TERM}) = 1 AS is_kept_in_fct_student_diploma
+FROM o_diplomas QUALIFY n_duplicates > 1""", "o_diplomas")
+
+cte("o_dq_d16", """
+SELECT k_course, count(*) AS n_records, 'bld_course_subject' AS data_source
+FROM o_course_subject GROUP BY 1 HAVING count(*) > 1""", "o_course_subject")

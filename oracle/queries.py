@@ -39,8 +39,10 @@ final("q2_attendance_rate_by_subgroup", "o_q2", bigint=("school_year",),
       double=("total_days_attended", "total_days_enrolled", "attendance_rate"))
 final("ds_school_address", "o_school_address")
 final("ds_wide_ids_school", "o_wide_ids_school")
-final("ds_dim_course", "o_dim_course", bigint=("school_year",))
-final("ds_dim_course_section", "o_dim_course_section", bigint=("school_year", "available_credits"))
+final("ds_dim_course", "o_dim_course", bigint=("school_year",), lists=("subject_array",))
+final("ds_dim_course_section", "o_dim_course_section",
+      bigint=("school_year", "available_credits", "instructional_time_planned", "sequence_of_course"),
+      lists=("course_level_characteristics_array",))
 final("ds_dim_grading_period", "o_dim_grading_period", bigint=("school_year", "period_sequence"))
 final("ds_fct_student_grades", "o_fct_grades", bigint=("school_year", "grade_sort_index"),
       double=("unweighted_gpa_points",))
@@ -88,8 +90,12 @@ final("ds_qc_sections_per_enrollment", "o_sections_per_enrollment", bigint=("sch
 final("dq_d18_enrollments_without_overlapping_sections", "o_dq_d18", bigint=("school_year",))
 final("dq_d22_schools_with_enrollments_without_sections", "o_dq_d22",
       bigint=("school_year", "n_enrollments_without_sections"))
-final("dq_d23_sections_without_staff", "o_dq_d23", bigint=("school_year", "available_credits"))
-final("dq_d24_sections_without_students", "o_dq_d24", bigint=("school_year", "available_credits"))
+final("dq_d23_sections_without_staff", "o_dq_d23",
+      bigint=("school_year", "available_credits", "instructional_time_planned", "sequence_of_course"),
+      lists=("course_level_characteristics_array",))
+final("dq_d24_sections_without_students", "o_dq_d24",
+      bigint=("school_year", "available_credits", "instructional_time_planned", "sequence_of_course"),
+      lists=("course_level_characteristics_array",))
 final("ds_parent_wide_emails", "o_parent_wide_emails")
 final("ds_dim_parent", "o_dim_parent", bigint=("school_year",))
 final("ds_fct_student_parent_association", "o_fct_student_parent", bigint=("school_year", "contact_priority"))
@@ -109,9 +115,9 @@ final("q8_gpa_with_latest_student", "o_q8", bigint=("school_year",))
 final("ds_fct_staff_school_association", "o_fct_staff_school", bigint=("school_year", "order_of_assignment"),
       double=("full_time_equivalency",))
 final("q7_latest_staff_assignment", "o_q7")
-final("ds_course_char__combined_long", "o_course_char_long")
-final("ds_course_char__combined_wide", "o_course_char_wide", lists=("course_level_characteristics",))
-final("ds_course_subject", "o_course_subject", lists=("academic_subjects",))
+final("ds_course_char__combined_long", "o_course_char_long", bigint=("api_year",))
+final("ds_course_char__combined_wide", "o_course_char_wide", bigint=("api_year",), lists=("course_level_characteristics_array",))
+final("ds_course_subject", "o_course_subject", bigint=("api_year",), lists=("subject_array",))
 final("ds_wide_ids_course", "o_wide_ids_course", bigint=("api_year",))
 final("ds_brg_course_section_program", "o_brg_section_program")
 final("ds_immutable_candidate_demos", "o_immutable_candidate_demos", bigint=("school_year",), lists=("race_array",))
@@ -201,5 +207,10 @@ final("ds_candidate_race_ethnicity", "o_candidate_race", lists=("race_array",))
 final("ds_candidate__other_names", "o_candidate_other_names", bigint=("api_year",))
 final("ds_stu_grade_level_custom", "o_stu_grade_custom", bigint=("school_year", "grade_level_integer"))
 final("dq_d19_grade_level_override_unique", "o_dq_d19")
-final("ds_dim_course_section_custom", "o_dim_course_section_custom", bigint=("school_year", "available_credits"))
+final("ds_dim_course_section_custom", "o_dim_course_section_custom",
+      bigint=("school_year", "available_credits", "instructional_time_planned", "sequence_of_course"),
+      lists=("course_level_characteristics_array",))
+final("ds_fct_student_diploma_custom", "o_fct_diploma_custom", bigint=("school_year",))
+final("dq_d27_diploma_record_duplicates_custom", "o_dq_d27_custom", bigint=("school_year",))
+final("dq_d16_custom_course_sources_unique", "o_dq_d16")
 final("dq_d15_custom_course_section_sources_unique", "o_dq_d15")

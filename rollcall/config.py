@@ -101,6 +101,9 @@ class Config:
     other_name_types: tuple[str, ...] = ("Alias", "Previous Legal Name")
     candidate_name_types: tuple[str, ...] = ("Alias",)
 
+    # academic terms in their order, as (term, place); without, terms are ordered by name
+    academic_terms: tuple[tuple[str, int], ...] = ()
+
     # domain switches: a domain left out is neither read nor a column of any dataset
     domains: tuple[str, ...] = (
         "assessment", "cohort", "discipline", "esc", "homeless", "language_instruction",
@@ -146,6 +149,10 @@ CUSTOM_CONFIG = Config(
     custom_columns={
         "dim_student": (("bld_student_indicators", "iep_on_file", "coalesce(bld_student_indicators.has_iep, false)"),
                         (None, "is_upper_grade", "coalesce(grade_level_integer >= 3, false)")),
+        "dim_calendar_date": ((None, "is_month_end", "calendar_date = last_day(calendar_date)"),),
+        "dim_class_period": ((None, "is_long_period", "coalesce(period_duration > 45, false)"),),
+        "dim_staff": ((None, "has_email", "email_address IS NOT NULL"),),
+        "dim_course": (("bld_course_subject", "has_several_subjects", "coalesce(size(bld_course_subject.subject_array), 0) > 1"),),
         "dim_school": ((None, "is_elementary", "school_category = 'Elementary School'"),),
         "dim_course_section": (("bld_course_char__combined_wide", "is_honors_section",
                                 "coalesce(bld_course_char__combined_wide.is_honors, false)"),),
@@ -159,5 +166,6 @@ CUSTOM_CONFIG = Config(
     programs={"homeless": {"excluded_program_names": ("1-URGENT",), "agg_types": ("annual", "active", "ever")},
               "title_i_part_a": {"custom_aggregates": (("has_open_title_i", "max(program_enroll_end_date IS NULL)"),)}},
     other_name_types=("Alias",),
+    academic_terms=(("Spring", 1), ("Fall", 2)),
     grade_level_override=("bld_student_indicators", "CASE WHEN reading_level >= 4 THEN 'Fourth grade' END"),
 )

@@ -56,10 +56,12 @@ def dim_calendar_date(wh) -> DataFrame:
     d = d.join(first, "k_school_calendar")
     d = d.withColumn("week_of_school_year", dates.week_of_school_year(
         "is_school_day", "week_of_calendar_year", "start_week_offset"))
-    return d.select("k_calendar_date", "k_school_calendar", "k_school", "tenant_code", "calendar_code",
-                    "school_year", "calendar_date", "calendar_event", "calendar_events_array",
-                    "is_school_day", "day_of_school_year", "week_day", "week_of_calendar_year",
-                    "week_of_school_year")
+    from .custom import add_custom_columns
+    out = d.select("k_calendar_date", "k_school_calendar", "k_school", "tenant_code", "calendar_code",
+                   "school_year", "calendar_date", "calendar_event", "calendar_events_array",
+                   "is_school_day", "day_of_school_year", "week_day", "week_of_calendar_year",
+                   "week_of_school_year")
+    return add_custom_columns(wh, "dim_calendar_date", out, ["k_calendar_date"])
 
 
 @dataset("bld_school_calendar_windows", grain=("tenant_code", "k_school", "school_year", "k_school_calendar"))

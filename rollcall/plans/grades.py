@@ -11,22 +11,33 @@ from .registry import dataset
 
 @dataset("dim_course", grain=("k_course",))
 def dim_course(wh) -> DataFrame:
-    """Courses at known schools."""
-    c = wh("stg_ef3__courses")
-    return c.join(wh("dim_school").select("k_school"), "k_school").select(
-        "k_course", "k_school", "tenant_code", "school_year", "course_code", "course_title", "academic_subject")
+    """Courses with wide id codes and their subject."""
+    from .custom import add_custom_columns
+    ids = wh("bld_wide_ids_course").drop("tenant_code", "api_year")
+    subject = wh("bld_course_subject").select("k_course", "academic_subject", "subject_array")
+    out = (wh("stg_ef3__courses").drop("academic_subject").join(ids, "k_course", "left").join(subject, "k_course", "left")
+           .select("k_course", "tenant_code", "school_year", "course_code", "course_title",
+                   *[c for c in ids.columns if c != "k_course"], "k_lea", "k_school", "ed_org_id", "ed_org_type",
+                   "academic_subject", "subject_array"))
+    return add_custom_columns(wh, "dim_course", out, ["k_course"])
 
 
 @dataset("dim_course_section", grain=("k_course_section",))
 def dim_course_section(wh) -> DataFrame:
-    """Section joined to its course (J1) and session."""
-    s = wh("stg_ef3__sections")
-    c = wh("dim_course").select("k_course", "course_code", "course_title", "academic_subject")
-    ses = wh("dim_session").select("k_session", "session_name")
+    """Sections joined to their offering and its course (J1), with the flags and
+    the list of their characteristics from all three levels (J2)."""
     from .custom import add_custom_columns
-    out = s.join(c, "k_course").join(ses, "k_session", "left").select(
-        "k_course_section", "k_course", "k_school", "k_session", "tenant_code", "school_year", "section_id",
-        "section_name", "available_credits", "course_code", "course_title", "academic_subject", "session_name")
+    s = wh("stg_ef3__sections").drop("school_year", "api_year")
+    o = wh("stg_ef3__course_offerings").drop("tenant_code", "api_year", "v_course_level_characteristics")
+    c = wh("dim_course").select("k_course", "course_code", "course_title", "academic_subject")
+    chars = wh("bld_course_char__combined_wide").drop("tenant_code", "api_year")
+    flags = [x for x in chars.columns if x not in ("k_course_section", "course_level_characteristics_array")]
+    out = (s.join(o, "k_course_offering").join(c, "k_course").join(chars, "k_course_section", "left").select(
+        "k_course_section", "k_course", "k_school", "k_session", F.col("k_location").alias("k_classroom"), "tenant_code", "section_id",
+        "section_name", "local_course_code", "local_course_title", "course_code", "course_title", "school_year", "session_name",
+        "academic_subject", "instructional_time_planned", "is_official_attendance_period", "sequence_of_course",
+        *[F.coalesce(f, F.lit(False)).alias(f) for f in flags], "course_level_characteristics_array",
+        "educational_environment_type", "available_credits"))
     return add_custom_columns(wh, "dim_course_section", out, ["k_course_section"])
 
 
@@ -61,37 +72,39 @@ def fct_student_grades(wh) -> DataFrame:
                     "exclude_from_gpa", "is_dorf", "grade_sort_index", *extension_names(wh, "stg_ef3__grades"))
 
 
-_CHARS = "array<struct<courseLevelCharacteristicDescriptor:string>>"
-
-
 @dataset("bld_course_char__combined_long", grain=("k_course_section", "course_level_characteristic"))
 def course_char_combined_long(wh) -> DataFrame:
-    """Characteristics from the section and its course (JSON
-    lists flattened with ``explode_outer``), stacked and made distinct."""
-    from ..functions.columns import descriptor_short
-    sec = wh("stg_ef3__sections_chars").select(
-        "tenant_code", "k_course_section",
-        F.explode_outer(F.from_json("v_course_level_characteristics", _CHARS)).alias("c"))
-    crs = wh("stg_ef3__courses_chars").select(
-        "tenant_code", "k_course_section", F.explode_outer(F.from_json("v_level_characteristics", _CHARS)).alias("c"))
-    u = sec.unionByName(crs).select(
-        "tenant_code", "k_course_section",
-        descriptor_short(F.col("c.courseLevelCharacteristicDescriptor")).alias("course_level_characteristic"))
-    return u.filter(F.col("course_level_characteristic").isNotNull()).distinct()
+    """Characteristics of the section, its offering and its course
+    (JSON lists read by path, flattened with ``explode_outer``), stacked and made
+    distinct."""
+    from ..functions.columns import descriptor_short, json_items
+    sections = wh("stg_ef3__sections").select("tenant_code", "api_year", "k_course_offering", "k_course_section",
+                                              F.col("v_course_level_characteristics").alias("list"))
+    offerings = wh("stg_ef3__course_offerings").select("tenant_code", "api_year", "k_course", "k_course_offering",
+                                                       F.col("v_course_level_characteristics").alias("list"))
+    courses = wh("stg_ef3__courses").select("tenant_code", "api_year", "k_course", F.col("v_level_characteristics").alias("list"))
+    of_section = sections.select("k_course_offering", "k_course_section")
+    of_offering = offerings.select("k_course", "k_course_offering").join(of_section, "k_course_offering").select("k_course", "k_course_section")
+    keys = ["tenant_code", "api_year", "k_course_section"]
+    stacked = (sections.join(offerings.select("k_course_offering"), "k_course_offering", "left_semi").select(*keys, "list")
+               .unionByName(offerings.join(of_section, "k_course_offering").select(*keys, "list"))
+               .unionByName(courses.join(of_offering, "k_course").select(*keys, "list")))
+    c = stacked.select(*keys, F.explode_outer(json_items("list")).alias("c")).select(
+        *keys, descriptor_short(F.try_variant_get("c", "$.courseLevelCharacteristicDescriptor", "string"))
+        .alias("course_level_characteristic"))
+    return c.filter(F.col("course_level_characteristic").isNotNull()).distinct()
 
 
 @dataset("bld_course_char__combined_wide", grain=("k_course_section",))
 def course_char_combined_wide(wh) -> DataFrame:
-    """Sorted characteristic list plus one flag per crosswalk indicator."""
-    from ..operators.reshape import pivot_flags
-    from ..operators.sets import sorted_array
-    long = wh("bld_course_char__combined_long")
+    """The sorted list of a section's characteristics and one flag per
+    crosswalk indicator, in one aggregate."""
     xw = seed(wh("xwalk_course_level_characteristics"))
     pairs = [(r[0], r[1]) for r in xw.orderBy("indicator_name").collect()]
-    arr = long.groupBy("k_course_section").agg(sorted_array("course_level_characteristic")
-                                                .alias("course_level_characteristics"))
-    flags = pivot_flags(long, ["k_course_section"], "course_level_characteristic", pairs)
-    return arr.join(flags, "k_course_section")
+    name = F.col("course_level_characteristic")
+    return wh("bld_course_char__combined_long").groupBy("tenant_code", "api_year", "k_course_section").agg(
+        F.sort_array(F.collect_list(name)).alias("course_level_characteristics_array"),
+        *[F.max(name == F.lit(value)).alias(flag) for value, flag in pairs])
 
 
 @dataset("bld_course_subject", grain=("k_course",))
@@ -100,11 +113,11 @@ def course_subject(wh) -> DataFrame:
     from ..functions.columns import single_or_multiple
     from ..operators.sets import sorted_array
     subj = (wh("stg_ef3__courses__academic_subjects").groupBy("k_course")
-            .agg(sorted_array("academic_subject").alias("academic_subjects")))
-    c = wh("stg_ef3__courses").select("k_course", "academic_subject")
-    j = c.join(subj, "k_course", "left")
-    return j.select("k_course", "academic_subjects",
-                    F.coalesce(single_or_multiple("academic_subjects"), F.col("academic_subject")).alias("academic_subject"))
+            .agg(sorted_array("academic_subject").alias("subject_array")))
+    c = wh("stg_ef3__courses").select("tenant_code", "api_year", "k_course", "academic_subject")
+    return c.join(subj, "k_course", "left").select(
+        "tenant_code", "api_year", "k_course", "subject_array",
+        F.coalesce(single_or_multiple("subject_array"), F.col("academic_subject")).alias("academic_subject"))
 
 
 @dataset("bld_wide_ids_course", grain=("tenant_code", "api_year", "k_course"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import deduplicate
+from ..operators.dedupe import first_by
 from ..operators.sets import union_all
 from ..operators.windows import count_per
 from .checks import check
@@ -59,7 +59,12 @@ def _diplomas(wh) -> DataFrame:
     r = wh.table("fct_student_academic_record").select(
         "k_student_academic_record", "tenant_code", "k_student", "k_student_xyear", "k_lea", "k_school", "school_year",
         "academic_term")
-    return d.join(r, "k_student_academic_record")
+    terms = F.lit(1)
+    if wh.config.academic_terms:
+        terms = F.lit(None).cast("int")
+        for term, place in wh.config.academic_terms:
+            terms = F.when(F.col("academic_term") == term, F.lit(place)).otherwise(terms)
+    return d.join(r, "k_student_academic_record").withColumn("sort_index", terms)
 
 
 _DIPLOMA_KEY = ["k_student", "k_student_xyear", "school_year", "k_lea", "k_school", "diploma_type", "diploma_award_date"]
@@ -67,11 +72,16 @@ _DIPLOMA_KEY = ["k_student", "k_student_xyear", "school_year", "k_lea", "k_schoo
 
 @dataset("fct_student_diploma", grain=tuple(_DIPLOMA_KEY))
 def fct_student_diploma(wh) -> DataFrame:
-    """One diploma per student, year, organization, type and date; the
-    academic term decides (P3: term dropped from the output)."""
-    d = deduplicate(_diplomas(wh), _DIPLOMA_KEY, [F.col("academic_term").asc_nulls_last(),
-                                                   F.col("k_student_academic_record").asc_nulls_last()])
-    return d.drop("academic_term")
+    """One diploma per student, year, organization, type and date: that of
+    the first academic term, by the configured order if there is one (P3: term
+    and order dropped from the output)."""
+    d = first_by(_diplomas(wh), _DIPLOMA_KEY, _term_order(wh))
+    return d.drop("academic_term", "sort_index")
+
+
+def _term_order(wh) -> list[tuple[str, str]]:
+    by = "sort_index" if wh.config.academic_terms else "academic_term"
+    return [(by, "asc nulls last"), ("k_student_academic_record", "asc nulls last")]
 
 
 @check("d27_diploma_record_duplicates")
@@ -79,9 +89,8 @@ def diploma_record_duplicates(wh) -> DataFrame:
     """Diplomas sharing the fact's key, marking the row the fact keeps."""
     from ..operators.dedupe import flag_first
     d = count_per(_diplomas(wh), _DIPLOMA_KEY, "n_duplicates")
-    d = flag_first(d, "is_kept_in_fct_student_diploma", _DIPLOMA_KEY,
-                   [F.col("academic_term").asc_nulls_last(), F.col("k_student_academic_record").asc_nulls_last()])
-    return d.filter(F.col("n_duplicates") > 1)
+    order = [F.col(c).asc_nulls_last() for c, _ in _term_order(wh)]
+    return flag_first(d, "is_kept_in_fct_student_diploma", _DIPLOMA_KEY, order).filter(F.col("n_duplicates") > 1).drop("sort_index")
 
 
 @dataset("fct_course_transcripts", grain=("k_course", "k_student_academic_record", "course_attempt_result"))

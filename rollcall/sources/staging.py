@@ -535,23 +535,46 @@ class Staging(ProgramStaging):
 
     def _stg_ef3__courses(self) -> DataFrame:
         p = self("part_home")
-        return p.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
+        js = F.when(F.col("p_size") > 40, self._course_chars_json(F.lit("Honors"))).otherwise(F.lit("[]"))
+        return p.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"), F.lit(SCHOOL_YEAR).alias("api_year"),
                         key("tenant_code", "p_partkey").alias("k_course"),
+                        key("tenant_code", "home_nationkey").alias("k_lea"),
                         key("tenant_code", "home_school_id").alias("k_school"),
+                        F.col("home_school_id").cast("string").alias("ed_org_id"), F.lit("School").alias("ed_org_type"),
                         F.col("p_partkey").cast("string").alias("course_code"),
                         F.col("p_name").alias("course_title"),
-                        F.initcap("p_type").alias("academic_subject"))
+                        F.initcap("p_type").alias("academic_subject"), js.alias("v_level_characteristics"))
 
-    def _stg_ef3__sections(self) -> DataFrame:
+    def _stg_ef3__course_offerings(self) -> DataFrame:
         p = self("part_home")
-        return p.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"),
-                        key("tenant_code", "p_partkey", F.lit("S1")).alias("k_course_section"),
+        js = (F.when(_mod("p_partkey", 10) == 0, self._course_chars_json(F.lit("AP")))
+              .when(_mod("p_partkey", 6) == 0, self._course_chars_json(F.lit("Honors"))))
+        return p.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"), F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "p_partkey", F.lit("offering")).alias("k_course_offering"),
                         key("tenant_code", "p_partkey").alias("k_course"),
                         key("tenant_code", "home_school_id").alias("k_school"),
                         key("tenant_code", "home_school_id", F.lit(SCHOOL_YEAR), F.lit("Year Round")).alias("k_session"),
+                        F.lit("Year Round").alias("session_name"),
+                        F.concat(F.lit("L"), F.col("p_partkey").cast("string")).alias("local_course_code"),
+                        F.concat(F.col("p_name"), F.lit(" (local)")).alias("local_course_title"),
+                        (F.col("p_size") * 10).alias("instructional_time_planned"), js.alias("v_course_level_characteristics"))
+
+    def _stg_ef3__sections(self) -> DataFrame:
+        p = self("part_home")
+        js = (F.when(_mod("p_partkey", 13) == 0, F.lit(None).cast("string"))
+              .when(_mod("p_partkey", 9) == 0, self._course_chars_json(F.lit("Dual Credit")))
+              .when(_mod("p_partkey", 4) == 0, self._course_chars_json(F.lit("Honors")))
+              .otherwise(F.lit("[]")))
+        return p.select("tenant_code", F.lit(SCHOOL_YEAR).alias("school_year"), F.lit(SCHOOL_YEAR).alias("api_year"),
+                        key("tenant_code", "p_partkey", F.lit("S1")).alias("k_course_section"),
+                        key("tenant_code", "p_partkey", F.lit("offering")).alias("k_course_offering"),
+                        F.when(_mod("p_partkey", 3) != 0, key("tenant_code", "home_school_id", F.lit("R101"))).alias("k_location"),
                         F.concat(F.col("p_partkey").cast("string"), F.lit("-S1")).alias("section_id"),
                         F.col("p_brand").alias("section_name"),
-                        F.col("p_size").alias("available_credits"))
+                        (_mod("p_partkey", 8) == 0).alias("is_official_attendance_period"),
+                        (_mod("p_partkey", 2) + 1).alias("sequence_of_course"),
+                        F.lit("Classroom").alias("educational_environment_type"),
+                        F.col("p_size").alias("available_credits"), js.alias("v_course_level_characteristics"))
 
     def _stg_ef3__grading_periods(self) -> DataFrame:
         sch = self("stg_ef3__schools").select("tenant_code", "school_id", "k_school")
@@ -1009,23 +1032,6 @@ class Staging(ProgramStaging):
     def _course_chars_json(self, col) -> Column:
         return F.concat(F.lit('[{"courseLevelCharacteristicDescriptor": "' + CHAR_URI), col, F.lit('"}]'))
 
-    def _stg_ef3__courses_chars(self) -> DataFrame:
-        p = self("part_home")
-        js = F.when(F.col("p_size") > 40, self._course_chars_json(F.lit("Honors"))).otherwise(F.lit("[]"))
-        return p.select(key("tenant_code", "p_partkey").alias("k_course"),
-                        key("tenant_code", "p_partkey", F.lit("S1")).alias("k_course_section"),
-                        "tenant_code", js.alias("v_level_characteristics"))
-
-    def _stg_ef3__sections_chars(self) -> DataFrame:
-        p = self("part_home")
-        js = (F.when(_mod("p_partkey", 13) == 0, F.lit(None).cast("string"))
-              .when(_mod("p_partkey", 9) == 0, self._course_chars_json(F.lit("Dual Credit")))
-              .when(_mod("p_partkey", 4) == 0, self._course_chars_json(F.lit("Honors")))
-              .otherwise(F.lit("[]")))
-        return p.select(key("tenant_code", "p_partkey", F.lit("S1")).alias("k_course_section"),
-                        key("tenant_code", "p_partkey").alias("k_course"),
-                        "tenant_code", js.alias("v_course_level_characteristics"))
-
     def _stg_ef3__courses__academic_subjects(self) -> DataFrame:
         p = self("part_home")
         subj = F.when(_mod("p_partkey", 5) == 0, F.array(F.initcap("p_type"), F.lit("Science"))).when(
