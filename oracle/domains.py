@@ -834,6 +834,21 @@ FROM o_fct_gpa g
 LEFT JOIN (SELECT * FROM o_dim_student WHERE is_latest_record) s ON g.k_student_xyear = s.k_student_xyear""",
     "o_fct_gpa", "o_dim_student")
 
+cte("o_q8_transcripts", """
+SELECT t.k_course, t.k_student_academic_record, t.k_student_xyear, t.school_year, t.academic_term, t.course_title,
+       t.course_attempt_result, t.earned_credits, t.final_letter_grade_earned,
+       s.k_student AS latest_k_student, s.display_name, s.grade_level
+FROM o_fct_transcripts t
+LEFT JOIN (SELECT * FROM o_dim_student WHERE is_latest_record) s ON t.k_student_xyear = s.k_student_xyear""",
+    "o_fct_transcripts", "o_dim_student")
+
+cte("o_q8_records", """
+SELECT r.k_student_academic_record, r.k_student_xyear, r.school_year, r.academic_term, r.cumulative_earned_credits,
+       s.k_student AS latest_k_student, s.display_name, s.grade_level
+FROM o_fct_academic_record r
+LEFT JOIN (SELECT * FROM o_dim_student WHERE is_latest_record) s ON r.k_student_xyear = s.k_student_xyear""",
+    "o_fct_academic_record", "o_dim_student")
+
 # ---------------------------------------------------------------- staff school assignments
 cte("o_fct_staff_school", f"""
 SELECT {K('tenant_code', 'school_year', 'begin_date', 'k_staff', 'k_school', 'program_assignment',

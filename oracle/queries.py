@@ -112,6 +112,8 @@ final("ds_fct_student_gpa", "o_fct_gpa", bigint=("school_year",), double=("max_g
 final("ds_fct_student_diploma", "o_fct_diploma", bigint=("school_year",))
 final("dq_d27_diploma_record_duplicates", "o_dq_d27", bigint=("school_year",))
 final("q8_gpa_with_latest_student", "o_q8", bigint=("school_year",))
+final("q8_transcripts_with_latest_student", "o_q8_transcripts", bigint=("school_year",))
+final("q8_records_with_latest_student", "o_q8_records", bigint=("school_year", "cumulative_earned_credits"))
 final("ds_fct_staff_school_association", "o_fct_staff_school", bigint=("school_year", "order_of_assignment"),
       double=("full_time_equivalency",))
 final("q7_latest_staff_assignment", "o_q7")

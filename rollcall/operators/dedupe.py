@@ -45,9 +45,32 @@ def first_by(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[tupl
     timestamps and booleans can be; text can't, so text keys must all ascend or
     all descend (then the greatest is taken instead of the least).
     """
+    parts, greatest = _ranked(df, order_by)
+    rest = [c for c in df.columns if c not in partition_by]
+    pick = (F.max_by if greatest else F.min_by)(F.struct(*rest), F.struct(*parts))
+    best = df.groupBy(*partition_by).agg(pick.alias("__rc_row"))
+    return best.select(*[F.col(c) if c in partition_by else F.col(f"__rc_row.`{c}`").alias(c) for c in df.columns])
+
+
+def first_along(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[tuple[str, str]], sorted_by: str) -> DataFrame:
+    """R1 for rows that are already sorted by ``partition_by`` and ``sorted_by``:
+    the first row under ``order_by`` without a sort in that order.  The least
+    encoded key of the partition is found by an unordered window; rows that are
+    equal in it are told apart by their place."""
+    parts, greatest = _ranked(df, order_by)
+    whole = Window.partitionBy(*partition_by)
+    place = F.row_number().over(whole.orderBy(sorted_by))
+    key = F.struct(*parts, (-F.col(_RN) if greatest else F.col(_RN)).alias("place"))
+    best = (F.max if greatest else F.min)("__rc_key").over(whole)
+    return (df.withColumn(_RN, place).withColumn("__rc_key", key).withColumn("__rc_best", best)
+            .filter(F.col("__rc_key") == F.col("__rc_best")).drop(_RN, "__rc_key", "__rc_best"))
+
+
+def _ranked(df: DataFrame, order_by: Sequence[tuple[str, str]]) -> tuple[list[Column], bool]:
+    """Fields of a struct that ranks rows, and whether the first row has the greatest."""
     text = {how.startswith("desc") for name, how in order_by if isinstance(df.schema[name].dataType, T.StringType)}
     if len(text) > 1:
-        raise ValueError("first_by: text keys sort in both directions; use deduplicate")
+        raise ValueError("text keys sort in both directions; use deduplicate")
     greatest = text == {True}
     parts = []
     for i, (name, how) in enumerate(order_by):
@@ -55,10 +78,7 @@ def first_by(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[tupl
         parts.append((null if how.endswith("first") == greatest else ~null).alias(f"n{i}"))
         value = F.col(name) if how.startswith("desc") == greatest else _turned(F.col(name), df.schema[name].dataType)
         parts.append(value.alias(f"v{i}"))
-    rest = [c for c in df.columns if c not in partition_by]
-    pick = (F.max_by if greatest else F.min_by)(F.struct(*rest), F.struct(*parts))
-    best = df.groupBy(*partition_by).agg(pick.alias("__rc_row"))
-    return best.select(*[F.col(c) if c in partition_by else F.col(f"__rc_row.`{c}`").alias(c) for c in df.columns])
+    return parts, greatest
 
 
 def _turned(c: Column, t: T.DataType) -> Column:

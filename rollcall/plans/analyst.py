@@ -123,13 +123,30 @@ def q7_latest_staff_assignment(wh) -> DataFrame:
         "staff_classification", "begin_date", "end_date")
 
 
-def q8_gpa_with_latest_student(wh) -> DataFrame:
-    """Q8: GPA rows joined to the student's latest dimension row."""
-    g = wh.table("fct_student_gpa").select("k_student_academic_record", "k_student_xyear", "school_year",
-                                           "academic_term", "gpa_type", "gpa_value")
+def with_latest_student(wh, rows: DataFrame) -> DataFrame:
+    """Rows of any year with their student's latest dimension row."""
     s = (wh.table("dim_student").filter(F.col("is_latest_record"))
          .select("k_student_xyear", F.col("k_student").alias("latest_k_student"), "display_name", "grade_level"))
-    return g.join(s, "k_student_xyear", "left")
+    return rows.join(s, "k_student_xyear", "left")
+
+
+def q8_gpa_with_latest_student(wh) -> DataFrame:
+    """Q8: GPA rows of all years with the student as last known."""
+    return with_latest_student(wh, wh.table("fct_student_gpa").select(
+        "k_student_academic_record", "k_student_xyear", "school_year", "academic_term", "gpa_type", "gpa_value"))
+
+
+def q8_transcripts_with_latest_student(wh) -> DataFrame:
+    """Q8: transcript rows of all years with the student as last known."""
+    return with_latest_student(wh, wh.table("fct_course_transcripts").select(
+        "k_course", "k_student_academic_record", "k_student_xyear", "school_year", "academic_term", "course_title",
+        "course_attempt_result", "earned_credits", "final_letter_grade_earned"))
+
+
+def q8_records_with_latest_student(wh) -> DataFrame:
+    """Q8: academic records of all years with the student as last known."""
+    return with_latest_student(wh, wh.table("fct_student_academic_record").select(
+        "k_student_academic_record", "k_student_xyear", "school_year", "academic_term", "cumulative_earned_credits"))
 
 
 QUERIES = {
@@ -141,6 +158,8 @@ QUERIES = {
     "q6_suspension_rate": q6_suspension_rate,
     "q7_latest_staff_assignment": q7_latest_staff_assignment,
     "q8_gpa_with_latest_student": q8_gpa_with_latest_student,
+    "q8_transcripts_with_latest_student": q8_transcripts_with_latest_student,
+    "q8_records_with_latest_student": q8_records_with_latest_student,
     "q9_program_enrollments_with_services": q9_program_enrollments_with_services,
     "q10_other_result_score": q10_other_result_score,
 }

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import day_count_in_range, within_end_date
 from ..functions.metrics import band_lookup, chronic_absentee, rate_pct
-from ..operators.dedupe import deduplicate, first_by
+from ..operators.dedupe import first_along, first_by
 from ..operators.joins import seed
 from ..operators.windows import partition_sum, running_sum, streaks
 from ..sources.seeds import ABSENTEE_CATEGORIES
@@ -127,7 +127,7 @@ def fct_student_daily_attendance(wh) -> DataFrame:
     # the same stage.
     ses = wh("dim_session").select(F.col("k_session").alias("__ev_session"),
                                    F.col("total_instructional_days").alias("__ev_days"))
-    ev = (att.select("k_student", "k_school", "k_calendar_date", F.col("k_session").alias("__ev_session"),
+    ev = (att.select("k_student", "k_school", "calendar_date", "k_calendar_date", F.col("k_session").alias("__ev_session"),
                      "attendance_event_category", "attendance_event_reason", "is_absent",
                      "attendance_excusal_status", "event_duration", "school_attendance_duration")
           .join(ses, "__ev_session", "left"))
@@ -136,7 +136,8 @@ def fct_student_daily_attendance(wh) -> DataFrame:
     both = days.withColumn("__is_day", F.lit(True)).unionByName(
         ev.withColumn("__is_day", F.lit(False)), allowMissingColumns=True)
     both = both.repartition("k_student", "k_school")
-    w_day = Window.partitionBy("k_student", "k_school", "k_calendar_date")
+    # one sort by student, school and day serves this, the dedupe, the streaks and the running totals
+    w_day = Window.partitionBy("k_student", "k_school", "calendar_date", "k_calendar_date")
     picked = F.min(F.when(~F.col("__is_day"), F.struct(*ev_fields))).over(w_day)
     filled = both.withColumn("__ev", picked).filter(F.col("__is_day"))
     filled = filled.select(*[c for c in days.columns], *[F.col(f"__ev.{c}").alias(c) for c in ev_fields])
@@ -162,10 +163,10 @@ def fct_student_daily_attendance(wh) -> DataFrame:
          .alias("attendance_excusal_status"),
         "event_duration", "school_attendance_duration",
     )
-    rows = deduplicate(rows, ["k_student", "k_school", "calendar_date"], [
-        F.col("is_enrolled").desc_nulls_first(), F.col("total_instructional_days").asc_nulls_last(),
-        F.col("attendance_event_category").asc_nulls_last(), F.col("k_session").asc_nulls_last(),
-        F.col("attendance_event_reason").asc_nulls_last(), F.col("event_duration").asc_nulls_last()])
+    rows = first_along(rows, ["k_student", "k_school", "calendar_date"], [
+        ("is_enrolled", "desc nulls first"), ("total_instructional_days", "asc nulls last"),
+        ("attendance_event_category", "asc nulls last"), ("k_session", "asc nulls last"),
+        ("attendance_event_reason", "asc nulls last"), ("event_duration", "asc nulls last")], "k_calendar_date")
     key = ["k_student", "k_school"]
     rows = streaks(rows, key, "attendance_excusal_status", "calendar_date", "consecutive_days_by_excusal_status")
     rows = (rows

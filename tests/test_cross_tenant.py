@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rollcall import Config, Warehouse, load_all
 from rollcall.functions.keys import surrogate_key
-from rollcall.operators.dedupe import deduplicate, first_by
+from rollcall.operators.dedupe import deduplicate, first_along, first_by
 from rollcall.plans.cross_tenant import same_person
 
 D = dt.date
@@ -115,6 +115,20 @@ def test_first_by_is_deduplicate(spark, order):
     assert "partial_m" in plan and "Window" not in plan
 
 
+@pytest.mark.parametrize("order", [
+    [("n", "desc nulls first"), ("s", "asc nulls last")], [("s", "desc nulls first"), ("d", "asc nulls first")]])
+def test_first_along_is_deduplicate(spark, order):
+    r = random.Random(2)
+    rows = [(r.randrange(9), r.choice([None, 1.5, 2.5]), r.choice([None, "a", "b"]), r.choice([None, D(2020, 1, 1), D(1960, 1, 1)]), i)
+            for i in range(200)]
+    df = spark.createDataFrame(rows + rows, "k int, n double, s string, d date, i int")
+    got = [tuple(x) for x in first_along(df, ["k"], order, "i").drop("i").collect()]
+    by = [getattr(F.col(c), how.replace(" ", "_"))() for c, how in order]
+    want = deduplicate(df, ["k"], [*by, F.col("i")]).drop("i").collect()
+    keys = [0, *[df.columns.index(c) for c, _ in order]]
+    assert len(got) == 9 and sorted(str([x[j] for j in keys]) for x in got) == sorted(str([x[j] for j in keys]) for x in want)
+
+
 def test_first_by_refuses_text_both_ways(spark):
     df = spark.createDataFrame([(1, "a", "b")], "k int, s string, t string")
     with pytest.raises(ValueError):

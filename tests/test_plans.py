@@ -49,4 +49,19 @@ def test_filters_and_columns_reach_the_scan(spark):
     df = st("stg_ef3__student_school_attendance_events").select("k_student", "attendance_event_date")
     plan = df._jdf.queryExecution().executedPlan().toString()
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "events" in line][0]
-    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in scan or "value" not in scan
+    read = re.search(r"ReadSchema: struct<(.*?)>", scan)[1]
+    assert {c.split(":")[0] for c in read.split(",")} == {"ts", "user_id"}, scan
+
+
+def test_daily_attendance_sorts_the_big_table_once(wh):
+    """The day's event, the dedupe, the streaks and the running totals all go by
+    student, school and day."""
+    plan = wh("fct_student_daily_attendance")._jdf.queryExecution().executedPlan().toString()
+    above = plan[:re.search(r"Exchange hashpartitioning\(k_student#\d+, k_school#\d+, \d+\)", plan).start()]
+    assert len(re.findall(r"\bSort \[", above)) == 1, above
+
+
+def test_attendance_events_are_combined_before_they_are_dealt(wh):
+    from rollcall.plans.registry import DATASETS
+    plan = DATASETS["fct_student_school_attendance_event"].fn(wh)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan and "row_number" not in plan, plan
