@@ -53,6 +53,19 @@ def removed(*tables: DataFrame) -> None:
     spark._jvm.System.gc()
 
 
+def with_row_ids(docs: DataFrame, name: str) -> DataFrame:
+    """The rows with a binary column ``name`` that tells them apart and is the
+    same whenever they are read: a hash of the file they are in and their place
+    there.  Rows that don't come straight from files are written first."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    if plan.nodeName() != "LogicalRelation":
+        docs = written(docs, "rows")
+    place = F.concat(*(F.lpad(F.hex(n), 16, "0") for n in (F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index"))))
+    return docs.select("*", F.unhex(place).alias(name))
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only.  Pure-ASCII text takes the built-in fast path,
     where both forms agree; other text must keep its accented capitals."""

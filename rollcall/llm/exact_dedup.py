@@ -5,6 +5,10 @@ length, then by a hash of a prefix, and only rows that still share both get a
 hash of their full content.  Lower-casing A-Z keeps the byte length, so the
 first two steps touch little text.
 
+Texts are never dealt.  Which rows still need their full hash is looked up in a
+table of at most ``FILTER_BUCKETS`` buckets of (length, prefix hash); a row that
+meets one by chance is hashed in vain and told apart by its hash.
+
 Each step counts its keys with partial aggregation and keeps the keys that
 occur twice or more, so a text copied into a third of all rows is one counted
 key; joins with the key tables leave skew to AQE, and no step holds a group.
@@ -23,6 +27,8 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, written
 
 PREFIX = 128
+#: buckets of the filter over suspected lengths and prefixes; its table is bounded by this
+FILTER_BUCKETS = 1 << 20
 RESULT = ("keep_id", "group_size", "kept")
 
 
@@ -43,17 +49,20 @@ def exact_dedup(docs: DataFrame, kept_columns: list[Column] | None = None, id_co
     length = F.octet_length(_raw(text)).alias("_dedup_length")
     prefix = F.xxhash64(ascii_lower(F.substring(_raw(text), 1, PREFIX))).alias("_dedup_prefix")
 
-    lengths = (docs.select(length).groupBy("_dedup_length").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
-    suspects = (docs.select(length, prefix).join(lengths, "_dedup_length", "left_semi")
-                .groupBy("_dedup_length", "_dedup_prefix").agg(F.count("*").alias("n")).where("n > 1")
-                .select("_dedup_length", "_dedup_prefix", F.lit(True).alias("_dedup_suspect")))
+    own_key = F.xxhash64("_dedup_length", "_dedup_prefix")
+    bucket = F.pmod(own_key, F.lit(FILTER_BUCKETS)).cast("int").alias("_dedup_bucket")
+    keys = docs.select(length, prefix).groupBy("_dedup_length", "_dedup_prefix").agg(F.count("*").alias("n"))
+    several = (docs.select(length).groupBy("_dedup_length").agg(F.count("*").alias("n")).where("n > 1").select("_dedup_length"))
+    suspects = keys.where("n > 1").join(several, "_dedup_length", "left_semi").select(bucket).distinct()
+    # at most FILTER_BUCKETS rows of four bytes
+    suspects = F.broadcast(written(suspects, "exact-suspects").withColumn("_dedup_suspect", F.lit(True)))
 
     columns = [F.col(c) for c in docs.columns if c not in RESULT] if kept_columns is None else kept_columns
-    wide = docs.select(*columns, doc.alias("_dedup_id"), length, prefix, normalised(text).alias("_dedup_text"))
     own = docs.select(*columns).columns
+    wide = docs.select(*columns, doc.alias("_dedup_id"), text.alias("_dedup_text"), length, prefix)
     rows = written(
-        wide.join(suspects, ["_dedup_length", "_dedup_prefix"], "left")
-        .select(*own, "_dedup_id", F.when(F.col("_dedup_suspect"), F.sha2("_dedup_text", 256)).alias("_dedup_hash"),
+        wide.select("*", bucket).join(suspects, "_dedup_bucket", "left")
+        .select(*own, "_dedup_id", F.when(F.col("_dedup_suspect"), F.sha2(normalised(F.col("_dedup_text")), 256)).alias("_dedup_hash"),
                 F.monotonically_increasing_id().alias("_dedup_row")), "exact-dedup")
 
     # null ids sort before all others in max(); of one id the first row written stays

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import with_row_ids, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, MOST_COPIES = (3, 1, 2), 1.5, 2
@@ -83,10 +83,11 @@ def mix(docs: DataFrame, carried: list[str] | None = None) -> DataFrame:
     """The carried columns (default: all) of every row, then ``size,
     source_size, target, copies, taken``."""
     carried = [c for c in (docs.columns if carried is None else carried) if c not in RESULT]
-    rows = written(docs.select(*carried, n_words(F.col("text")).alias("size"), source_key(F.col("source")).alias("_mix_source"),
-                               F.xxhash64("doc_id", "text").alias("_mix_hash"),
-                               F.monotonically_increasing_id().alias("_mix_row")), "mix-rows")
-    narrow = rows.select("_mix_source", "size", *_levels())
+    rows = with_row_ids(docs, "_mix_row").select(
+        *carried, n_words(F.col("text")).alias("size"), source_key(F.col("source")).alias("_mix_source"),
+        F.xxhash64("doc_id", "text").alias("_mix_hash"), "_mix_row")
+    # read again by every level; the rows themselves are not copied
+    narrow = written(rows.select("_mix_source", "size", *_levels()), "mix-levels")
     names = [f"_mix_{i}" for i in range(HASH_LEVELS + ROW_LEVELS)]
 
     sizes = rows.groupBy("_mix_source").agg(F.sum("size").alias("source_size"))
@@ -111,10 +112,11 @@ def mix(docs: DataFrame, carried: list[str] | None = None) -> DataFrame:
         if i + 1 < len(names):
             at = at.drop("_mix_words")
 
-    borders = plan.select("_mix_source", "source_size", "target", "_mix_all").join(
+    # one row per source, written so that its size is known where the rows meet it
+    borders = written(plan.select("_mix_source", "source_size", "target", "_mix_all").join(
         at.select("_mix_source", F.struct(*names).alias("_mix_border"),
                   # the border row itself, if that comes nearer to the target
-                  (F.col("_mix_left") * 2 >= F.col("_mix_words")).alias("_mix_last")), "_mix_source")
+                  (F.col("_mix_left") * 2 >= F.col("_mix_words")).alias("_mix_last")), "_mix_source"), "mix-borders")
     place = F.struct(*_levels())
     once_more = (place < F.col("_mix_border")) | ((place == F.col("_mix_border")) & F.col("_mix_last"))
     copies = F.least(F.col("_mix_all") + F.when(once_more, 1).otherwise(0), F.lit(MOST_COPIES)).cast("long")
