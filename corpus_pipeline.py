@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm import bpe, exact_dedup, jaccard_join, language, mixing, quality
-from rollcall.llm.common import read, written
+from rollcall.llm.common import read, with_row_ids, written
 from rollcall.llm.queries import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -25,22 +25,25 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of each group of equal texts (operator 2)."""
-    return exact_dedup.exact_dedup(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
+    """One of each group of equal texts (operator 2), decided on row ids: the
+    documents themselves are read once more and go on as they are."""
+    rows = with_row_ids(docs.select(*COLUMNS), "row")
+    gone = exact_dedup.exact_dedup(rows, [F.col("row")]).where("not kept").select("row")
+    return rows.join(written(gone, "copies"), "row", "left_anti").select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of the n-gram Jaccard join (operator 6): that
-    with the smallest doc_id, null ids last, and of these the first.  Rows are
-    numbered for this, as they may share a doc_id or have none."""
-    docs = written(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "near-docs")
+    with the smallest doc_id, null ids last, and of these the first.  Rows have
+    ids of their own for this, as they may share a doc_id or have none."""
+    docs = with_row_ids(docs.select(*COLUMNS), "row")
     near = written(jaccard_join.jaccard_components(docs, id_column="row").select("row", "component_id")
                    .join(docs.select("row", "doc_id"), "row"), "near-rows")
     place = F.struct(F.col("doc_id").isNull().alias("nulls"), "doc_id", "row")
     first = (near.groupBy("component_id").agg(F.min(place)["row"].alias("first"), F.count("*").alias("k"))
              .where("k > 1").select("component_id", "first"))
     gone = near.join(first, "component_id").where("row != first").select("row")
-    return docs.join(gone, "row", "left_anti").select(*COLUMNS)
+    return docs.join(written(gone, "near-copies"), "row", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
