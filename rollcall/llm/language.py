@@ -138,33 +138,42 @@ def train(w: np.ndarray, labels: list[str], epochs: int = 12, rate: float = 0.01
     return ByteNetwork(languages, params[:-2], params[-2], params[-1])
 
 
-def fit(docs: DataFrame, usable: Column, max_documents: int = 4000, windows_each: int = 4) -> ByteNetwork | None:
-    """Learn from ``text`` and ``lang`` of a bounded sample of the usable rows."""
+def fit(docs: DataFrame, usable: Column, max_documents: int = 4000, windows_each: int = 4,
+        max_languages: int = 256) -> ByteNetwork | None:
+    """Learn from ``text`` and ``lang`` of a bounded sample of the usable rows: of
+    each language the rows with the least hashes, an equal share of
+    ``max_documents`` (its own rows, if it has fewer), so that a rare language is
+    learned too.  Of more than ``max_languages`` the commonest are learned."""
     rows = (docs.where(usable & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-            .select("lang", "text", F.xxhash64("doc_id").alias("h")))
+            .select("lang", "text", F.xxhash64("doc_id", "text").alias("h")))
 
     def cut(batches):
         for b in batches:
-            langs, data = [], []
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            langs, data, hashes = [], [], []
+            for lang, text, h in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 if _LETTER.search(text):
                     w = windows(text)
                     for i in np.unique(np.linspace(0, len(w) - 1, windows_each).astype(int)):
                         langs.append(lang)
                         data.append(w[i].tobytes())
-            yield {"lang": langs, "data": data}
+                        hashes.append(h)
+            yield {"lang": langs, "data": data, "h": hashes}
 
-    # the ids of the sample first, so no text is sorted
-    border = rows.select("h").orderBy("h").limit(max_documents).agg(F.max("h")).first()[0]
-    if border is None:
+    known = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(max_languages).collect()
+    if not known:
         return None
-    got = arrow_rows(rows.where(F.col("h") <= border).select("lang", "text"), "lang string, data binary", cut) \
-        .limit(max_documents * windows_each).toArrow()
+    share = -(-max_documents // len(known))
+    # the hashes of a language are spread evenly, so those below this border are a little over its share
+    least = {r.lang: -2**63 + min(1.0, 1.2 * share / r.n + 40 / r.n) * 2**64 for r in known}
+    border = F.create_map(*[F.lit(x) for lang, top in least.items() for x in (lang, int(min(top, 2**63 - 1)))])
+    near = rows.where(F.col("h") <= F.try_element_at(border, F.col("lang")))
+    got = (arrow_rows(near, "lang string, data binary, h bigint", cut)
+           .orderBy("h", "lang", "data").limit(2 * (share + 40) * len(known) * windows_each).toArrow())
     if not got.num_rows:
         return None
     data = got.column("data").to_pylist()
     langs = got.column("lang").to_pylist()
-    order = sorted(range(len(data)), key=lambda i: (data[i], langs[i]))  # tasks end in any order
+    order = sorted(range(len(data)), key=lambda i: (data[i], langs[i]))
     w = np.frombuffer(b"".join(data[i] for i in order), dtype=np.uint8).reshape(-1, WINDOW)
     return train(w, [langs[i] for i in order])
 

@@ -126,7 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, max_documents: int =
         "doc_id", F.col("quality").cast("int").alias("quality"))
     # at most max_documents rows, so the broadcast is bounded
     chosen = known.orderBy(F.xxhash64("doc_id"), "quality").limit(max_documents)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+        "quality", "text", F.xxhash64("doc_id", "text").alias("h"))
 
     def cut(batches):
         for b in batches:
@@ -134,9 +135,10 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, max_documents: int =
             for t in text_bytes(b):
                 x = passages(t)
                 data.append(x[np.unique(np.linspace(0, len(x) - 1, passages_each).astype(int))].tobytes())
-            yield {"quality": b.column(0), "data": data}
+            yield {"quality": b.column(0), "data": data, "h": b.column("h")}
 
-    got = arrow_rows(rows, "quality int, data binary", cut).limit(2 * max_documents).toArrow()
+    # rows may share an id: of twice as many as asked for the ones with the least hashes stay, whatever task ends first
+    got = arrow_rows(rows, "quality int, data binary, h bigint", cut).orderBy("h", "quality").limit(2 * max_documents).toArrow()
     bags = sorted(zip(got.column("data").to_pylist(), got.column("quality").to_pylist(), strict=True))
     if not bags:
         return None
