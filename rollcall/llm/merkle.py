@@ -152,8 +152,8 @@ def manifest(docs: DataFrame, group: str = "lang", tampered: Column | None = Non
                     "merkle-nodes")
     levels, roots = _pivots(nodes, "merkle-rows")
 
-    tops = roots.select(F.lit(0).cast("long").alias("grp"), F.col("grp").alias("pos"), F.col("subroot").alias("node"),
-                        F.struct("grp", "depth").alias("payload"))
+    tops = written(roots.select(F.lit(0).cast("long").alias("grp"), F.col("grp").alias("pos"), F.col("subroot").alias("node"),
+                                F.struct("grp", "depth").alias("payload")), "merkle-tops")
     top_levels, top_root = _pivots(tops, "merkle-tops")
     begin = top_root.select("grp", "depth", "subroot", F.array().cast(_PATH).alias("path"))
     starts = _proofs(tops, top_levels, begin).select(

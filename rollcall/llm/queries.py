@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, conversations, exact_dedup, fingerprints, jaccard_join, language, licenses, line_dedup, merkle, mixing,
+from . import (bpe, conversations, exact_dedup, fingerprints, jaccard_join, language, licenses, line_dedup, merkle, mixing, oracle,
                quality, substrings, suffix_dedup)
 from .common import read
 
@@ -105,4 +105,6 @@ ORACLE = {
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.t) AS text_sha256
         FROM d JOIN g ON d.t = g.t""",
+    "op11_merkle_manifest": oracle.MERKLE,
+    "op12_substring_dedup": oracle.SUBSTRINGS,
 }
