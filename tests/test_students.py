@@ -31,8 +31,9 @@ def no_broadcast(spark):
 def test_star_deals_the_students_once(spark, no_broadcast):
     plan = warehouse(spark)("dim_student")._jdf.queryExecution().executedPlan().toString()
     exchanges = re.findall(r"Exchange hashpartitioning\((\w+)#\d+[L,]", plan)
-    assert exchanges.count("k_student") == 1 and set(exchanges) == {"k_student", "k_student_xyear"}, plan
-    assert plan.count("SortMergeJoin") == 16 and "Bucketed: true" in plan
+    # the others are of the staging's school lookup, which is broadcast otherwise
+    assert exchanges.count("k_student") == 1 and exchanges.count("k_student_xyear") == 1, plan
+    assert plan.count("Bucketed: true") == 16 and "BroadcastHashJoin" not in plan, plan
 
 
 def test_a_domain_that_is_off_is_neither_read_nor_a_column(spark):
