@@ -86,8 +86,12 @@ def mix(docs: DataFrame, carried: list[str] | None = None) -> DataFrame:
     rows = with_row_ids(docs, "_mix_row").select(
         *carried, n_words(F.col("text")).alias("size"), source_key(F.col("source")).alias("_mix_source"),
         F.xxhash64("doc_id", "text").alias("_mix_hash"), "_mix_row")
-    # read again by every level; the rows themselves are not copied
-    narrow = written(rows.select("_mix_source", "size", *_levels()), "mix-levels")
+    # read again by every level; texts are not copied for it, their words counted once more at the end instead
+    if "text" in carried:
+        narrow = written(rows.select("_mix_source", "size", *_levels()), "mix-levels")
+    else:
+        rows = written(rows, "mix-rows")
+        narrow = rows.select("_mix_source", "size", *_levels())
     names = [f"_mix_{i}" for i in range(HASH_LEVELS + ROW_LEVELS)]
 
     sizes = rows.groupBy("_mix_source").agg(F.sum("size").alias("source_size"))
