@@ -141,3 +141,14 @@ LEFT JOIN o_primary_disability d ON e.k_student_program = d.k_student_program"""
 cte("o_program_homeless_custom", _flags("homeless", "program_name NOT IN ('1-URGENT')"), "stg_enr_homeless")
 cte("o_program_title_i_part_a_custom", _flags("title_i_part_a", extra=", bool_or(program_enroll_end_date IS NULL) AS has_open_title_i"),
     "stg_enr_title_i_part_a")
+
+# ---------------------------------------------------------------- Title I over the enrollments of all programs
+cte("o_program_title_i_part_a_all", f"""
+SELECT g.*, bool_or(g.is_title_i_part_a_annual) OVER (PARTITION BY g.k_student_xyear) AS is_title_i_part_a_ever,
+       coalesce(t.is_title_i_active, false) AS is_title_i_active, coalesce(t.is_title_i_annual, false) AS is_title_i_annual,
+       t.title_i_part_a_participant_status, coalesce(t.is_title_i_ever, false) AS is_title_i_ever
+FROM (SELECT k_student, k_student_xyear, min(tenant_code) AS tenant_code,
+             bool_or(program_name NOT IN ('1-URGENT') AND {_ACTIVE}) AS is_title_i_part_a_active,
+             bool_or(program_name NOT IN ('1-URGENT')) AS is_title_i_part_a_annual, count(*) AS n_title_i_enrollments
+      FROM stg_prog_assoc GROUP BY 1, 2) g
+LEFT JOIN o_program_title_i_part_a t ON g.k_student = t.k_student""", "stg_prog_assoc", "o_program_title_i_part_a")

@@ -146,3 +146,23 @@ def test_streaks_share_the_order_of_the_totals(spark):
         (1, 1), (2, 2), (1, 3), (2, 4), (1, 5), (1, 6), (2, 7), (3, 8)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"\bSort \[", plan)) == 1, plan
+
+
+def test_title_i_reads_the_enrollments_of_all_programs(spark):
+    from rollcall.sources.program_stages import GENERIC, PROGRAM_STAGES
+    schema = ("k_student string, k_student_xyear string, tenant_code string, program_name string, program_enroll_begin_date date, "
+              "program_enroll_end_date date")
+    rows = [("a1", "a", "t", "1-URGENT", D(2024, 1, 1), None), ("a1", "a", "t", "5-LOW", D(2024, 1, 1), D(2024, 1, 9)),
+            ("a2", "a", "t", "1-URGENT", D(2024, 1, 1), None), ("b1", "b", "t", "4-NOT SPECIFIED", D(2024, 1, 1), None),
+            ("c1", "c", "t", "1-URGENT", D(2024, 1, 1), None)]
+    own = spark.createDataFrame([(*r, "Targeted") for r in rows if r[3] == "4-NOT SPECIFIED"],
+                                schema + ", title_i_part_a_participant_status string")
+    wh = warehouse(spark, {GENERIC.associations: spark.createDataFrame(rows, schema),
+                           PROGRAM_STAGES["title_i_part_a"].associations: own})
+    got = by(wh("bld_student_program__title_i_part_a__all_programs"), "k_student")
+    assert {k: (r.n_title_i_enrollments, r.is_title_i_part_a_active, r.is_title_i_part_a_annual, r.is_title_i_part_a_ever)
+            for k, r in got.items()} == {"a1": (2, False, True, True), "a2": (1, False, False, True), "b1": (1, True, True, True),
+                                         "c1": (1, False, False, False)}
+    assert {k: (r.is_title_i_active, r.is_title_i_annual, r.is_title_i_ever, r.title_i_part_a_participant_status)
+            for k, r in got.items() if k != "b1"} == dict.fromkeys(("a1", "a2", "c1"), (False, False, False, None))
+    assert (got["b1"].is_title_i_active, got["b1"].title_i_part_a_participant_status) == (True, "Targeted")
