@@ -148,6 +148,19 @@ def test_streaks_share_the_order_of_the_totals(spark):
     assert len(re.findall(r"\bSort \[", plan)) == 1, plan
 
 
+def test_class_period_keeps_the_count_and_the_first_of_several_meetings(spark):
+    several = '[{"startTime": "01:10:00", "endTime": "02:00:00"}, {"startTime": "09:00:00", "endTime": "09:50:00"}]'
+    stg = spark.createDataFrame([("two", "s", "t", 2024, "two", True, several), ("none", "s", "t", 2024, "none", True, "[]")],
+                                "k_class_period string, k_school string, tenant_code string, school_year int, class_period_name string, "
+                                "is_official_attendance_period boolean, v_meeting_times string")
+    got = by(warehouse(spark, {"stg_ef3__class_periods": stg, "dim_school": spark.createDataFrame([("s",)], "k_school string")})(
+        "dim_class_period"), "k_class_period")
+    r = got["two"]
+    assert (r.n_meeting_times, r.first_start_time, r.first_end_time, r.class_duration) == (2, "13:10:00", "14:00:00", 50)
+    assert (r.start_time, r.end_time, r.period_duration) == (None, None, None)
+    assert (got["none"].n_meeting_times, got["none"].first_start_time, got["none"].class_duration) == (0, None, None)
+
+
 def test_title_i_reads_the_enrollments_of_all_programs(spark):
     from rollcall.sources.program_stages import GENERIC, PROGRAM_STAGES
     schema = ("k_student string, k_student_xyear string, tenant_code string, program_name string, program_enroll_begin_date date, "
