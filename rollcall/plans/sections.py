@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import iff
 from ..functions.dates import within_end_date
+from ..functions.keys import packed, unpacked
 from ..operators.dedupe import first_by, row_pluck
 from ..operators.windows import flag_partition_max
 from .checks import check
@@ -27,12 +28,17 @@ def _active(df: DataFrame, today, name: str = "is_active_enrollment") -> DataFra
 @dataset("fct_student_section_association", grain=("k_student", "k_course_section", "begin_date"))
 def fct_student_section_association(wh) -> DataFrame:
     """Student x section of known students and sections (J1), active flag."""
-    s = wh("stg_ef3__student_section_associations")
-    stu = wh("dim_student").select("k_student", "k_student_xyear")
-    sec = wh("dim_course_section").select("k_course_section", "k_school")
+    s = _packed(wh("stg_ef3__student_section_associations"), "k_student", "k_course_section")
+    stu = _packed(wh("dim_student").select("k_student", "k_student_xyear"), "k_student", "k_student_xyear")
+    sec = _packed(wh("dim_course_section").select("k_course_section", "k_school"), "k_course_section", "k_school")
     j = _active(s.join(stu, "k_student").join(sec, "k_course_section"), wh.config.today())
-    return j.select("k_student", "k_student_xyear", "k_school", "k_course_section", "tenant_code", "school_year",
-                    "begin_date", "end_date", "is_homeroom", "is_active_enrollment")
+    keys = ["k_student", "k_student_xyear", "k_school", "k_course_section"]
+    return j.select(*[unpacked(k).alias(k) for k in keys], "tenant_code", "school_year", "begin_date", "end_date",
+                    "is_homeroom", "is_active_enrollment")
+
+
+def _packed(df: DataFrame, *keys: str) -> DataFrame:
+    return df.withColumns({k: packed(k) for k in keys})
 
 
 @dataset("bld_staff_emails")
@@ -98,18 +104,20 @@ def sections_per_enrollment(wh) -> DataFrame:
     """Sections overlapping each enrollment (a section begins or ends
     inside it), zero kept.  Equi-joined on student and school; the overlap
     test is the residual.  Like the reference, a section that spans the whole
-    enrollment is not counted."""
+    enrollment is not counted.  Of the sections only packed keys, dates and
+    whether they have a key go through the join."""
     inc = wh.config.exit_withdraw_date_inclusive
     e = wh.table("fct_student_school_association").select(
         "tenant_code", "k_school", "k_student", "school_year", "entry_date", "exit_withdraw_date")
     s = wh.table("fct_student_section_association").select(
-        F.col("k_student").alias("__s_student"), F.col("k_school").alias("__s_school"), "k_course_section",
-        "begin_date", "end_date")
+        packed("k_student").alias("__s_student"), packed("k_school").alias("__s_school"),
+        F.when(F.col("k_course_section").isNotNull(), True).alias("__s_known"), "begin_date", "end_date")
     begins_inside = (s.begin_date >= e.entry_date) & within_end_date(s.begin_date, e.exit_withdraw_date, inc)
     ends_inside = (s.end_date >= e.entry_date) & within_end_date(s.end_date, e.exit_withdraw_date, inc)
-    j = e.join(s, (e.k_student == s.__s_student) & (e.k_school == s.__s_school) & (begins_inside | ends_inside), "left")
+    j = e.join(s, (packed(e.k_student) == s.__s_student) & (packed(e.k_school) == s.__s_school)
+               & (begins_inside | ends_inside), "left")
     return j.groupBy("tenant_code", "k_school", "k_student", "school_year", "entry_date").agg(
-        F.count("k_course_section").alias("n_sections"))
+        F.count("__s_known").alias("n_sections"))
 
 
 @check("d18_enrollments_without_overlapping_sections")
@@ -128,16 +136,20 @@ def schools_with_enrollments_without_sections(wh) -> DataFrame:
     return g.withColumn("p_enrollments_without_sections", p).filter(F.col("p_enrollments_without_sections") > 0)
 
 
+def _without(sections: DataFrame, associations: DataFrame) -> DataFrame:
+    """The sections no association names, met on packed keys."""
+    named = associations.select(packed("k_course_section").alias("__named"))
+    return sections.join(named, packed(sections.k_course_section) == named.__named, "left_anti")
+
+
 @check("d23_sections_without_staff")
 def sections_without_staff(wh) -> DataFrame:
-    return wh.table("dim_course_section").join(
-        wh.table("fct_staff_section_association").select("k_course_section"), "k_course_section", "left_anti")
+    return _without(wh.table("dim_course_section"), wh.table("fct_staff_section_association"))
 
 
 @check("d24_sections_without_students")
 def sections_without_students(wh) -> DataFrame:
-    return wh.table("dim_course_section").join(
-        wh.table("fct_student_section_association").select("k_course_section"), "k_course_section", "left_anti")
+    return _without(wh.table("dim_course_section"), wh.table("fct_student_section_association"))
 
 
 @dataset("fct_staff_school_association", grain=("k_staff_school_association",))

@@ -179,3 +179,36 @@ def test_title_i_reads_the_enrollments_of_all_programs(spark):
     assert {k: (r.is_title_i_active, r.is_title_i_annual, r.is_title_i_ever, r.title_i_part_a_participant_status)
             for k, r in got.items() if k != "b1"} == dict.fromkeys(("a1", "a2", "c1"), (False, False, False, None))
     assert (got["b1"].is_title_i_active, got["b1"].title_i_part_a_participant_status) == (True, "Targeted")
+
+
+def test_keys_are_packed_and_come_back(spark):
+    from pyspark.sql import functions as F
+
+    from rollcall.functions.keys import packed, unpacked
+    md5 = "00ff" * 8
+    keys = [md5, md5.upper(), md5[:-1], md5 + "0", "", "k1", "a" * 16, "\u00e9" * 8, md5 + "\n", None]
+    got = (spark.createDataFrame([(k,) for k in keys], "k string").withColumn("p", packed("k"))
+           .select("k", "p", unpacked("p").alias("back"), F.octet_length("p").alias("n")).collect())
+    assert [r.back for r in got] == keys
+    assert [r.k for r in got if r.n == 16] == [md5]
+    assert len({bytes(r.p) for r in got if r.k is not None}) == len(keys) - 1
+
+
+def test_sections_meet_enrollments_and_associations_by_any_key(spark):
+    from rollcall.plans import sections
+    day = D(2024, 1, 10)
+    enr = spark.createDataFrame([("t", "c", k, 2024, D(2024, 1, 1), None) for k in ("s1", "0f" * 16, "0F" * 16)],
+                                "tenant_code string, k_school string, k_student string, school_year int, entry_date date, "
+                                "exit_withdraw_date date")
+    assoc = spark.createDataFrame([("0f" * 16, "c", "x", day, None), ("0f" * 16, "c", None, day, None), ("s1", "d", "y", day, None),
+                                   ("s1", "c", "0f" * 16, day, None)],
+                                  "k_student string, k_school string, k_course_section string, begin_date date, end_date date")
+    sec = spark.createDataFrame([("x",), ("0f" * 16,), ("0F" * 16,), (None,)], "k_course_section string")
+    wh = warehouse(spark, {"fct_student_school_association": enr, "fct_student_section_association": assoc,
+                           "dim_course_section": sec})
+    assert {r.k_student: r.n_sections for r in sections.sections_per_enrollment(wh).collect()} == {
+        "s1": 1, "0f" * 16: 1, "0F" * 16: 0}
+    assert {r.k_course_section for r in sections.sections_without_students(wh).collect()} == {"0F" * 16, None}
+    plan = sections.sections_per_enrollment(wh)._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan.split("Join", 1)[1]
+    assert "__s_known" in joined and "unhex" in joined
