@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from rollcall import CUSTOM_CONFIG, Config, Warehouse, load_all
 from rollcall.operators.joins import optional_key_join
@@ -39,6 +40,23 @@ def test_keys(wh):
         ("unique", "s1", "Final", 3), ("not_null", "s2", None, 1), ("not_null", "s1", "Final", 1)}
 
 
+@pytest.mark.parametrize("values", [1, 2, 3])
+def test_keys_whose_hashes_collide_are_told_apart(wh, values):
+    few = lambda *grain: F.pmod(F.xxhash64(*grain), F.lit(values))
+    assert rows(constraints.key_summary(wh, ["fct_student_grades", "dim_student"], few)) == [
+        ("dim_student", "k_student", 2, 2, 0, 0),
+        ("fct_student_grades", "k_student,k_course_section,k_grading_period,grade_type", 7, 5, 1, 2)]
+
+
+def test_keys_are_dealt_as_hashes(wh, spark):
+    """No exchange holds the keys of a table without repeated ones; those that repeat come with their rows."""
+    plan = constraints.key_summary(wh, ["dim_student"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation <empty>" in plan and "Scan" not in plan, plan
+    from rollcall.plans.checks import grain_violations
+    assert rows(grain_violations(wh, "fct_student_grades")) == [("s1", "c1", "g1", "Final", 3)]
+    assert grain_violations(wh, "dim_student").count() == 0
+
+
 def test_references(wh):
     assert rows(constraints.reference_summary(wh, ["fct_student_grades"])) == [
         ("fct_student_grades", "k_course_section", "dim_course_section", 2, 6, 1, 2),
