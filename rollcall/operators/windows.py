@@ -57,15 +57,15 @@ def flag_partition_max(df: DataFrame, partition_by: Sequence[str], col: str, nam
 
     ``few_partitions=True`` is for keys like a tenant, where a window would put
     a third of the table into one task: the maxima are aggregated (map-side
-    partial aggregation, one row per key) and joined back; AQE turns that join
-    into a broadcast from the measured size of the aggregate.
+    partial aggregation, one row per key) and joined back by a broadcast.  Left to
+    AQE, the rows themselves would be dealt by those few keys, one task each,
+    before the size of the aggregate is known.
     """
     if not few_partitions:
         return df.withColumn(name, F.col(col) == F.max(col).over(Window.partitionBy(*_cols(partition_by))))
     mx = df.groupBy(*partition_by).agg(F.max(col).alias("__rc_max"))
-    # one row per key: AQE broadcasts it from its measured size (no forced hint,
-    # the number of keys is data, not a proven bound)
-    out = df.join(mx, list(partition_by), "left")
+    # one row per key, and the caller says that the keys are few
+    out = df.join(F.broadcast(mx), list(partition_by), "left")
     return out.withColumn(name, F.col(col) == F.col("__rc_max")).drop("__rc_max")
 
 

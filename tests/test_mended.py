@@ -212,3 +212,49 @@ def test_sections_meet_enrollments_and_associations_by_any_key(spark):
     plan = sections.sections_per_enrollment(wh)._jdf.queryExecution().optimizedPlan().toString()
     joined = plan.split("Join", 1)[1]
     assert "__s_known" in joined and "unhex" in joined
+
+
+def test_bucketed_tables_hold_any_key_and_are_dealt_packed(spark, tmp_path):
+    from rollcall.sources import sinks
+    keys = ["00ff" * 8, "00FF" * 8, "k1", "", None, "00ff" * 8]
+    df = spark.createDataFrame([(k, k, i) for i, k in enumerate(keys)], "k_student string, k_student_xyear string, n int")
+    table = sinks.materialize_bucketed(df, str(tmp_path / "t"), "k_student", 4)
+    assert table.columns == df.columns
+    assert sorted((r.n, r.k_student, r.k_student_xyear) for r in table.collect()) == [(i, k, k) for i, k in enumerate(keys)]
+    plan = table.join(table.select(table.k_student, table.n.alias("m")).hint("merge"), "k_student")
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count() == 2 * 2 + 3  # a repeated key meets both its rows, a NULL none
+    dealt = sinks.dealt(df, "k_student", 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "unhex" in dealt.split("RepartitionByExpression", 1)[1]
+
+
+def test_ever_holds_for_all_years_of_a_student_in_one_exchange_more(spark):
+    from rollcall.plans.programs import program_flags
+    from rollcall.config import ProgramSpec
+    from rollcall.sources.program_stages import GENERIC
+    day = D(2024, 1, 1)
+    st = spark.createDataFrame([("a1", "a", "t", "P", day, None), ("a2", "a", "t", "X", day, None), ("b1", "b", "t", "X", day, None),
+                                ("n1", None, "t", "P", day, None)],
+                               "k_student string, k_student_xyear string, tenant_code string, program_name string, "
+                               "program_enroll_begin_date date, program_enroll_end_date date")
+    spec = ProgramSpec("p", "program", "title_i_part_a", (), excluded_program_names=("X",))
+    df = program_flags(warehouse(spark, {GENERIC.associations: st}), spec, GENERIC)
+    assert df.columns[:3] == ["k_student_xyear", "k_student", "tenant_code"]
+    assert {r.k_student: tuple(r[f"is_{spec.flag}_{t}"] for t in ("active", "annual", "ever")) for r in df.collect()} == {
+        "a1": (True, True, True), "a2": (False, False, True), "b1": (False, False, False), "n1": (True, True, None)}
+    assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_latest_year_of_a_tenant_deals_no_rows_by_tenant(spark):
+    from rollcall.operators.windows import flag_partition_max
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.createDataFrame([("t", 2023), ("t", 2024), (None, 2024)], "tenant_code string, school_year int")
+        df = flag_partition_max(rows, ["tenant_code"], "school_year", "latest", few_partitions=True)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1, plan  # that of the maxima
+    assert {(r.tenant_code, r.school_year, r.latest) for r in df.collect()} == {
+        ("t", 2023, False), ("t", 2024, True), (None, 2024, None)}
