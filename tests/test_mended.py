@@ -258,3 +258,37 @@ def test_the_latest_year_of_a_tenant_deals_no_rows_by_tenant(spark):
     assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1, plan  # that of the maxima
     assert {(r.tenant_code, r.school_year, r.latest) for r in df.collect()} == {
         ("t", 2023, False), ("t", 2024, True), (None, 2024, None)}
+
+
+def _exchanged(df):
+    """Columns that the exchanges of a plan deal rows by, and the text of the plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Exchange hashpartitioning\((\w+)#", plan), plan
+
+
+MD5 = "0123456789abcdef" * 2
+
+
+def test_transcripts_meet_on_packed_keys(spark):
+    rows = [(MD5, "r1", "Pass", None), ("c2", MD5, "Pass", "own"), ("c2", None, "Pass", "no record"), (None, "r1", "Pass", "no course"),
+            (MD5.upper(), "r1", "Pass", "other key"), (MD5, "r1", "Pass", None)]
+    stg = spark.createDataFrame([("t", c, r, a, t, 1.0, "A") for c, r, a, t in rows],
+                                "tenant_code string, k_course string, k_student_academic_record string, course_attempt_result string, "
+                                "course_title string, earned_credits double, final_letter_grade_earned string")
+    records = spark.createDataFrame([("r1", None, "x1"), (MD5, "s2", MD5)], "k_student_academic_record string, k_student string, k_student_xyear string")
+    records = records.selectExpr("*", "'t' tenant_code", "2024 school_year", "'Fall' academic_term")
+    students = spark.createDataFrame([(MD5, "s2", "Two", "First grade", True), ("x1", "old", "One", "First grade", False)],
+                                     "k_student_xyear string, k_student string, display_name string, grade_level string, is_latest_record boolean")
+    wh = warehouse(spark, {"stg_ef3__course_transcripts": stg, "fct_student_academic_record": records, "dim_student": students,
+                           "dim_course": spark.createDataFrame([(MD5, "Art"), ("c2", "Music")], "k_course string, course_title string")})
+    made = wh("fct_course_transcripts")
+    got = sorted((r.k_course, r.k_student_academic_record, r.k_student, r.k_student_xyear, r.course_title) for r in made.collect()
+                 if r.k_student) + [r.course_title for r in made.collect() if not r.k_student]
+    assert got == [("c2", MD5, "s2", MD5, "own"), "Art", "Art"]
+    assert "unhex" in _exchanged(made)[1]
+    from rollcall.plans.analyst import with_latest_student
+    late = with_latest_student(wh, made.select("k_course", "k_student_xyear", "course_title"))
+    assert late.columns == ["k_student_xyear", "k_course", "course_title", "latest_k_student", "display_name", "grade_level"]
+    assert sorted(map(tuple, late.collect()), key=str) == [
+        (MD5, "c2", "own", "s2", "Two", "First grade"), *[("x1", MD5, "Art", None, None, None)] * 2]
+    assert "unhex" in _exchanged(late)[1]
