@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import pack_keys, unpack_keys
 from ..operators.joins import seed
 from .registry import dataset
 
@@ -55,19 +56,18 @@ def fct_student_grades(wh) -> DataFrame:
     """Grades of known students, schools, periods and sections (J1), with the
     letter-grade lookup matched case-insensitively (J14).
 
-    The big input (line items x orders) joins the dimensions by key; the
-    dimensions are small enough for AQE to broadcast at run time.
+    The big input (line items x orders) joins the dimensions by key, packed on
+    its way; dimensions that are small enough are broadcast by AQE at run time.
     """
     from .custom import add_extensions, extension_names
-    g = add_extensions(wh, "stg_ef3__grades", wh("stg_ef3__grades"))
-    stu = wh("dim_student").select("k_student")
-    sch = wh("dim_school").select("k_school")
-    gp = wh("dim_grading_period").select("k_grading_period")
-    sec = wh("dim_course_section").select("k_course_section")
+    keys = ["k_student", "k_school", "k_grading_period", "k_course_section"]
+    g = pack_keys(add_extensions(wh, "stg_ef3__grades", wh("stg_ef3__grades")), *keys)
+    stu, sch, gp, sec = (pack_keys(wh(t).select(k), k) for t, k in zip(
+        ("dim_student", "dim_school", "dim_grading_period", "dim_course_section"), keys, strict=True))
     xw = seed(wh("xwalk_letter_grades"))
     j = g.join(stu, "k_student").join(sch, "k_school").join(gp, "k_grading_period").join(sec, "k_course_section")
     j = j.join(xw, F.lower(j.letter_grade_earned) == xw.letter_grade, "left")
-    return j.select("k_student", "k_course_section", "k_school", "k_grading_period", "grade_type", "tenant_code",
+    return unpack_keys(j, *keys).select("k_student", "k_course_section", "k_school", "k_grading_period", "grade_type", "tenant_code",
                     "school_year", "letter_grade_earned", "numeric_grade_earned", "unweighted_gpa_points",
                     "exclude_from_gpa", "is_dorf", "grade_sort_index", *extension_names(wh, "stg_ef3__grades"))
 

@@ -292,3 +292,19 @@ def test_transcripts_meet_on_packed_keys(spark):
     assert sorted(map(tuple, late.collect()), key=str) == [
         (MD5, "c2", "own", "s2", "Two", "First grade"), *[("x1", MD5, "Art", None, None, None)] * 2]
     assert "unhex" in _exchanged(late)[1]
+
+
+def test_grades_meet_on_packed_keys(spark):
+    rows = [(MD5, "s", "g", "x"), ("st", "s", "g", MD5), (None, "s", "g", "x"), ("st", None, "g", "x"), ("st", "s", "g", "lost")]
+    stg = spark.createDataFrame([(*r, "t", 2024, "Final", "a", 1.0) for r in rows],
+                                "k_student string, k_school string, k_grading_period string, k_course_section string, tenant_code string, "
+                                "school_year int, grade_type string, letter_grade_earned string, numeric_grade_earned double")
+    one = lambda k, *v: spark.createDataFrame([(x,) for x in v], f"{k} string")
+    letters = spark.createDataFrame([("a", 4.0, False, False, 1)], "letter_grade string, unweighted_gpa_points double, exclude_from_gpa boolean, "
+                                                                   "is_dorf boolean, grade_sort_index int")
+    made = warehouse(spark, {"stg_ef3__grades": stg, "dim_student": one("k_student", MD5, "st"), "dim_school": one("k_school", "s"),
+                             "dim_grading_period": one("k_grading_period", "g"), "dim_course_section": one("k_course_section", "x", MD5),
+                             "xwalk_letter_grades": letters})("fct_student_grades")
+    assert sorted((r.k_student, r.k_school, r.k_grading_period, r.k_course_section) for r in made.collect()) == [
+        (MD5, "s", "g", "x"), ("st", "s", "g", MD5)]
+    assert "unhex" in _exchanged(made)[1]
