@@ -57,7 +57,8 @@ def student_assessments_long_results(wh) -> DataFrame:
     """Score results and performance levels stacked, the highest
     (text order) result kept per score name, then normalized through the
     score crosswalk whose identifier and family are optional (NULL = any);
-    unmapped names become 'other'."""
+    unmapped names become 'other'.  Rows are dealt by their result's key once,
+    for this and for the fact's pivot of its few scores."""
     cols = ["tenant_code", "api_year", "k_student_assessment", "k_assessment", "assessment_identifier", "namespace",
             "score_name", "score_result"]
     sr = wh("stg_ef3__student_assessments__score_results").select(*cols)
@@ -65,7 +66,7 @@ def student_assessments_long_results(wh) -> DataFrame:
         *cols[:6], F.col("performance_level_name").alias("score_name"),
         F.col("performance_level_result").alias("score_result"))
     stacked = sr.unionByName(pl)
-    d = first_by(stacked, ["k_student_assessment", "score_name"], [("score_result", "desc nulls first")])
+    d = first_by(stacked.repartition("k_student_assessment"), ["k_student_assessment", "score_name"], [("score_result", "desc nulls first")])
     fam = wh("dim_assessment").select("k_assessment", "assessment_family")
     d = d.join(fam, "k_assessment", "left")
     xw = seed(wh("xwalk_assessment_scores")).select(
@@ -146,13 +147,14 @@ def dim_objective_assessment(wh) -> DataFrame:
          grain=("k_student_objective_assessment", "original_score_name"), domain="assessment")
 def student_objective_assessments_long_results(wh) -> DataFrame:
     """Scores and levels stacked, highest (text) result per name,
-    normalized through a crosswalk keyed on four columns (no wildcard)."""
+    normalized through a crosswalk keyed on four columns (no wildcard).  Rows are
+    dealt by their result's key once, for this and for the fact's pivot."""
     cols = ["tenant_code", "k_student_objective_assessment", *_OBJ_KEY, "score_name", "score_result"]
     sr = wh("stg_ef3__student_objective_assessments__score_results").select(*cols)
     pl = wh("stg_ef3__student_objective_assessments__performance_levels").select(
         *cols[:5], F.col("performance_level_name").alias("score_name"),
         F.col("performance_level_result").alias("score_result"))
-    d = first_by(sr.unionByName(pl), ["k_student_objective_assessment", "score_name"],
+    d = first_by(sr.unionByName(pl).repartition("k_student_objective_assessment"), ["k_student_objective_assessment", "score_name"],
                  [("score_result", "desc nulls first")])
     xw = seed(wh("xwalk_objective_assessment_scores")).withColumnRenamed("original_score_name", "score_name")
     j = d.join(xw, [*_OBJ_KEY, "score_name"], "left")

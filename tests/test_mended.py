@@ -308,3 +308,34 @@ def test_grades_meet_on_packed_keys(spark):
     assert sorted((r.k_student, r.k_school, r.k_grading_period, r.k_course_section) for r in made.collect()) == [
         (MD5, "s", "g", "x"), ("st", "s", "g", MD5)]
     assert "unhex" in _exchanged(made)[1]
+
+
+def test_scores_of_a_result_are_dealt_once(spark, tmp_path):
+    from rollcall.plans.assessments import _results
+    key = "k_student_assessment"
+    base = "string, ".join(("tenant_code ", f"{key} ", "k_assessment ", "assessment_identifier ", "namespace ")) + "string, api_year int, "
+    scores = spark.createDataFrame([("t", "k1", "a", "i", "n", 2024, s, v) for s, v in (("Raw", "5"), ("Raw", None), ("Raw", "7"), ("Odd", "1"))],
+                                   base + "score_name string, score_result string")
+    levels = spark.createDataFrame([("t", "k2", "a", "i", "n", 2024, "Raw", "9")], base + "performance_level_name string, performance_level_result string")
+    xw = spark.createDataFrame([(None, "n", None, "Raw", "raw")], "assessment_identifier string, namespace string, assessment_family string, "
+                                                                  "original_score_name string, normalized_score_name string")
+    # written, so that its size is known and it is broadcast
+    spark.createDataFrame([("a", "f")], "k_assessment string, assessment_family string").write.parquet(f"{tmp_path}/dim")
+    long = warehouse(spark, {"stg_ef3__student_assessments__score_results": scores, "stg_ef3__student_assessments__performance_levels": levels,
+                             "dim_assessment": spark.read.parquet(f"{tmp_path}/dim"), "xwalk_assessment_scores": xw})("bld_student_assessments_long_results")
+    made = _results(long, key, ["raw"])
+    assert _exchanged(made)[0] == [key]
+    assert sorted((r[key], r.raw) for r in made.collect()) == [("k1", None), ("k2", "9")]
+
+
+def test_references_meet_on_packed_keys(spark):
+    from rollcall.plans import constraints
+    dims = {"dim_course": spark.createDataFrame([(MD5,), ("c",)], "k_course string"),
+            "dim_course_section": spark.createDataFrame([("1", MD5), ("2", "c"), ("3", "lost"), ("4", MD5.upper()), ("5", None), ("6", "lost")],
+                                                        "k_course_section string, k_course string")}
+    wh = warehouse(spark, dims)
+    bad = constraints.reference_violations(wh, ["dim_course_section"])
+    assert sorted((r.key, r.n_records) for r in bad.collect()) == [(MD5.upper(), 1), ("lost", 2)]
+    r = constraints.reference_summary(wh, ["dim_course_section"])
+    assert [(x.n_keys, x.n_rows, x.n_orphan_keys, x.n_orphan_rows) for x in r.collect()] == [(4, 5, 2, 3)]
+    assert "unhex" in _exchanged(r)[1]
