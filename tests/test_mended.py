@@ -2,6 +2,7 @@
 
 import datetime as dt
 import re
+import shutil
 
 import pytest
 
@@ -339,3 +340,19 @@ def test_references_meet_on_packed_keys(spark):
     r = constraints.reference_summary(wh, ["dim_course_section"])
     assert [(x.n_keys, x.n_rows, x.n_orphan_keys, x.n_orphan_rows) for x in r.collect()] == [(4, 5, 2, 3)]
     assert "unhex" in _exchanged(r)[1]
+
+
+@pytest.mark.parametrize("name,folder", [("customer_home", "staging-customer-home"), ("stg_ef3__schools", "staging-schools")])
+def test_rows_that_others_grow_from_are_spread_over_files(spark, tmp_path, name, folder):
+    """However few row groups a driver table has, its readers get several files."""
+    from rollcall.sources.staging import Staging
+    for t in ("region", "nation"):
+        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", tmp_path / f"{t}.parquet")
+    spark.range(0, 200, 1, 1).selectExpr("id c_custkey", "concat('c', id) c_name", "1 c_nationkey", "1.5D c_acctbal", "'X' c_mktsegment").write.parquet(
+        str(tmp_path / "customer.parquet"))
+    spark.range(0, 50, 1, 1).selectExpr("id s_suppkey", "concat('s', id) s_name", "cast(id % 25 as int) s_nationkey").write.parquet(
+        str(tmp_path / "supplier.parquet"))
+    df = Staging(spark, str(tmp_path))(name)
+    files = df.inputFiles()
+    assert len(files) > 1 and all(folder in f for f in files), files
+    assert df.count() == (200 if name == "customer_home" else 50)
