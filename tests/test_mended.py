@@ -356,3 +356,14 @@ def test_rows_that_others_grow_from_are_spread_over_files(spark, tmp_path, name,
     files = df.inputFiles()
     assert len(files) > 1 and all(folder in f for f in files), files
     assert df.count() == (200 if name == "customer_home" else 50)
+
+
+def test_joined_bucketed_tables_are_not_sorted_again(spark, tmp_path):
+    from rollcall.sources import sinks
+    rows = spark.range(0, 300, 1, 3).selectExpr("if(id % 50 = 0, null, md5(cast(id % 100 as string))) k_student", "id n")
+    one, two = (sinks.materialize_bucketed(rows, str(tmp_path / x), "k_student", 4) for x in "ab")
+    joined = one.join(two.selectExpr("k_student", "n m").hint("merge"), "k_student", "left")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Sort [" not in plan and "Exchange" not in plan, plan
+    # 98 keys of three rows each that all meet, and six rows without a key that meet none
+    assert joined.count() == 98 * 9 + 6 and joined.where("m is null").count() == 6
