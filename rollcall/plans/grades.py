@@ -58,14 +58,17 @@ def fct_student_grades(wh) -> DataFrame:
 
     The big input (line items x orders) joins the dimensions by key, packed on
     its way; dimensions that are small enough are broadcast by AQE at run time.
+    Schools are met by the text of their key: packed, it is planned with 100
+    bytes, and all grades would be dealt where the schools could be broadcast.
     """
     from .custom import add_extensions, extension_names
     keys = ["k_student", "k_school", "k_grading_period", "k_course_section"]
-    g = pack_keys(add_extensions(wh, "stg_ef3__grades", wh("stg_ef3__grades")), *keys)
-    stu, sch, gp, sec = (pack_keys(wh(t).select(k), k) for t, k in zip(
-        ("dim_student", "dim_school", "dim_grading_period", "dim_course_section"), keys, strict=True))
+    g = add_extensions(wh, "stg_ef3__grades", wh("stg_ef3__grades"))
+    g = pack_keys(g.join(wh("dim_school").select("k_school"), "k_school"), *keys)
+    stu, gp, sec = (pack_keys(wh(t).select(k), k) for t, k in (
+        ("dim_student", "k_student"), ("dim_grading_period", "k_grading_period"), ("dim_course_section", "k_course_section")))
     xw = seed(wh("xwalk_letter_grades"))
-    j = g.join(stu, "k_student").join(sch, "k_school").join(gp, "k_grading_period").join(sec, "k_course_section")
+    j = g.join(stu, "k_student").join(gp, "k_grading_period").join(sec, "k_course_section")
     j = j.join(xw, F.lower(j.letter_grade_earned) == xw.letter_grade, "left")
     return unpack_keys(j, *keys).select("k_student", "k_course_section", "k_school", "k_grading_period", "grade_type", "tenant_code",
                     "school_year", "letter_grade_earned", "numeric_grade_earned", "unweighted_gpa_points",
